@@ -5,20 +5,28 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidemark.llm import simhash
+from tidemark.llm import quality, simhash
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_tokeniser_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base counts, fertility measures and verdict of every document."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return quality.annotate(docs).withColumn("reason", F.coalesce("reason", F.lit("")))
+
+
 def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, fingerprint, component_id of every document."""
     return simhash.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_tokeniser_fertility": op1_tokeniser_fertility,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
 }
 
