@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import quality, simhash
+from tidemark.llm import quality, simhash, token_store
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -20,6 +20,11 @@ def op1_tokeniser_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.annotate(docs).withColumn("reason", F.coalesce("reason", F.lit("")))
 
 
+def op8_token_id_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, start, n_tokens and checksum of every document, read back from the token store."""
+    return token_store.store_and_check(_table(spark, sf_dir, "documents"))
+
+
 def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, fingerprint, component_id of every document."""
     return simhash.near_duplicates(_table(spark, sf_dir, "documents"))
@@ -27,6 +32,7 @@ def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_tokeniser_fertility": op1_tokeniser_fertility,
+    "op8_token_id_output": op8_token_id_output,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
 }
 
