@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import quality, simhash, token_store
+from tidemark.llm import quality, simhash, token_store, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -20,6 +20,11 @@ def op1_tokeniser_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.annotate(docs).withColumn("reason", F.coalesce("reason", F.lit("")))
 
 
+def op3_monolithic_gzip_normaliser(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The record of every page, read back from the rewritten archives."""
+    return warc.archive_and_read(_table(spark, sf_dir, "pages"))
+
+
 def op8_token_id_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, start, n_tokens and checksum of every document, read back from the token store."""
     return token_store.store_and_check(_table(spark, sf_dir, "documents"))
@@ -32,8 +37,20 @@ def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_tokeniser_fertility": op1_tokeniser_fertility,
+    "op3_monolithic_gzip_normaliser": op3_monolithic_gzip_normaliser,
     "op8_token_id_output": op8_token_id_output,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op3_monolithic_gzip_normaliser": """
+        with p as (
+            select page_id, strlen(coalesce(html, ''))::bigint as payload_bytes, sha256(coalesce(html, '')) as payload_digest
+            from pages
+        ), f as (select *, min(page_id) over (partition by payload_digest) as first_id from p)
+        select page_id, payload_bytes, payload_digest,
+            case when payload_bytes >= 100 and page_id <> first_id then 'revisit' else 'response' end as record_type,
+            case when payload_bytes >= 100 and page_id <> first_id then first_id end as refers_to
+        from f
+    """,
+}
