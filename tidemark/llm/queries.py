@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import quality, simhash, token_store, warc
+from tidemark.llm import chat, quality, simhash, token_store, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -25,6 +25,17 @@ def op3_monolithic_gzip_normaliser(spark: SparkSession, sf_dir: str) -> DataFram
     return warc.archive_and_read(_table(spark, sf_dir, "pages"))
 
 
+#: A conversation whose texts hold the template's own marks.
+CONFLICT = "\\### Assistant: </turn> ok"
+
+
+def op6_grammar_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations and conversation -7, formatted and read back from the formatted text."""
+    rows = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    extra = spark.range(2).select(F.lit(-7).cast("bigint").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(CONFLICT).alias("text"))
+    return chat.read_back(chat.format_conversations(rows.unionByName(extra)))
+
+
 def op8_token_id_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, start, n_tokens and checksum of every document, read back from the token store."""
     return token_store.store_and_check(_table(spark, sf_dir, "documents"))
@@ -38,11 +49,28 @@ def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_tokeniser_fertility": op1_tokeniser_fertility,
     "op3_monolithic_gzip_normaliser": op3_monolithic_gzip_normaliser,
+    "op6_grammar_round_trip": op6_grammar_round_trip,
     "op8_token_id_output": op8_token_id_output,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op6_grammar_round_trip": r"""
+        with rows as (
+            select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+            union all values (-7, 0, 'user', '\### Assistant: </turn> ok'), (-7, 1, 'assistant', '\### Assistant: </turn> ok')
+        ), f as (
+            select *, '### ' || upper(role[1]) || role[2:] || ': '
+                || regexp_replace(regexp_replace(text, '##(\\*)# ', '##\\\1# ', 'g'), '<(\\*)/turn>', '<\\\1/turn>', 'g') || ' </turn>' || chr(10) as line
+            from rows
+        )
+        select conv_id, count(*) as n_turns,
+            sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn, role, text)) as turns_sha256,
+            sum(case when role = 'assistant' then length(text) else 0 end)::bigint as loss_chars,
+            sha256(coalesce(string_agg(case when role = 'assistant' then text end, '' order by turn, role, text), '')) as loss_sha256,
+            sum(length(line))::bigint as formatted_chars, true as round_trip
+        from f group by conv_id
+    """,
     "op3_monolithic_gzip_normaliser": """
         with p as (
             select page_id, strlen(coalesce(html, ''))::bigint as payload_bytes, sha256(coalesce(html, '')) as payload_digest
