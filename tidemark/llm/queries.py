@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat, quality, simhash, token_store, warc
+from tidemark.llm import chat, pieces, quality, simhash, token_store, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -36,6 +36,11 @@ def op6_grammar_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_back(chat.format_conversations(rows.unionByName(extra)))
 
 
+def op7_sentencepiece_shared_prefix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The piece ids of every document, their number and whether they decode to the text."""
+    return pieces.encode_documents(_table(spark, sf_dir, "documents"))
+
+
 def op8_token_id_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, start, n_tokens and checksum of every document, read back from the token store."""
     return token_store.store_and_check(_table(spark, sf_dir, "documents"))
@@ -50,6 +55,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_tokeniser_fertility": op1_tokeniser_fertility,
     "op3_monolithic_gzip_normaliser": op3_monolithic_gzip_normaliser,
     "op6_grammar_round_trip": op6_grammar_round_trip,
+    "op7_sentencepiece_shared_prefix": op7_sentencepiece_shared_prefix,
     "op8_token_id_output": op8_token_id_output,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
 }
