@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat, pieces, quality, simhash, token_store, warc
+from tidemark.llm import chat, language_id, pieces, quality, simhash, token_store, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -25,6 +25,11 @@ def op3_monolithic_gzip_normaliser(spark: SparkSession, sf_dir: str) -> DataFram
     return warc.archive_and_read(_table(spark, sf_dir, "pages"))
 
 
+def op4_hyperdimensional_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, held_out, lang_pred and score of every document."""
+    return language_id.identify(_table(spark, sf_dir, "documents"))
+
+
 #: A conversation whose texts hold the template's own marks.
 CONFLICT = "\\### Assistant: </turn> ok"
 
@@ -54,6 +59,7 @@ def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_tokeniser_fertility": op1_tokeniser_fertility,
     "op3_monolithic_gzip_normaliser": op3_monolithic_gzip_normaliser,
+    "op4_hyperdimensional_language_id": op4_hyperdimensional_language_id,
     "op6_grammar_round_trip": op6_grammar_round_trip,
     "op7_sentencepiece_shared_prefix": op7_sentencepiece_shared_prefix,
     "op8_token_id_output": op8_token_id_output,
