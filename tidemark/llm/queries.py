@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat, language_id, pieces, quality, simhash, token_store, warc
+from tidemark.llm import chat, language_id, pieces, quality, simhash, token_store, toxicity, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -30,6 +30,11 @@ def op4_hyperdimensional_language_id(spark: SparkSession, sf_dir: str) -> DataFr
     return language_id.identify(_table(spark, sf_dir, "documents"))
 
 
+def op5_noisy_channel_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, held_out, score and predicted of every document."""
+    return toxicity.classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 #: A conversation whose texts hold the template's own marks.
 CONFLICT = "\\### Assistant: </turn> ok"
 
@@ -60,6 +65,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_tokeniser_fertility": op1_tokeniser_fertility,
     "op3_monolithic_gzip_normaliser": op3_monolithic_gzip_normaliser,
     "op4_hyperdimensional_language_id": op4_hyperdimensional_language_id,
+    "op5_noisy_channel_toxicity": op5_noisy_channel_toxicity,
     "op6_grammar_round_trip": op6_grammar_round_trip,
     "op7_sentencepiece_shared_prefix": op7_sentencepiece_shared_prefix,
     "op8_token_id_output": op8_token_id_output,
