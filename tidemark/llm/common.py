@@ -76,3 +76,18 @@ def sample_rows(df: DataFrame, key: str, bound: int) -> DataFrame:
     if n <= bound:
         return df
     return df.where(F.pmod(F.xxhash64(F.col(key), F.lit("sample")), F.lit(1 << 30)) < int((1 << 30) * bound / n))
+
+
+#: Id lists up to this many rows may be broadcast (16 bytes a row or so).
+BROADCAST_IDS = 500_000
+
+
+def without_ids(docs: DataFrame, ids: DataFrame, key: str = "doc_id") -> DataFrame:
+    """``docs`` without the rows whose ``key`` is in ``ids`` (one column, written beforehand).
+
+    The list is counted first: it is broadcast up to ``BROADCAST_IDS`` rows, joined by shuffle beyond. Rows with
+    a null key stay.
+    """
+    other = ids.select(F.col(ids.columns[0]).alias("__gone"))
+    small = other.count() <= BROADCAST_IDS
+    return docs.join(F.broadcast(other) if small else other, docs[key] == F.col("__gone"), "left_anti")

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat, language_id, pieces, quality, simhash, token_store, toxicity, warc
+from tidemark.llm import chat, decontamination, language_id, pieces, quality, resampling, simhash, token_store, toxicity, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -20,6 +20,11 @@ def op1_tokeniser_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.annotate(docs).withColumn("reason", F.coalesce("reason", F.lit("")))
 
 
+def op2_template_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The leaked benchmark items of every document."""
+    return decontamination.leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op3_monolithic_gzip_normaliser(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The record of every page, read back from the rewritten archives."""
     return warc.archive_and_read(_table(spark, sf_dir, "pages"))
@@ -61,8 +66,15 @@ def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op10_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, log_weight, key and selected of every document; the target are texts of good quality."""
+    good = _table(spark, sf_dir, "labels").where("quality = 1").select("doc_id")
+    return resampling.resample(_table(spark, sf_dir, "documents"), good)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_tokeniser_fertility": op1_tokeniser_fertility,
+    "op2_template_decontamination": op2_template_decontamination,
     "op3_monolithic_gzip_normaliser": op3_monolithic_gzip_normaliser,
     "op4_hyperdimensional_language_id": op4_hyperdimensional_language_id,
     "op5_noisy_channel_toxicity": op5_noisy_channel_toxicity,
@@ -70,6 +82,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_sentencepiece_shared_prefix": op7_sentencepiece_shared_prefix,
     "op8_token_id_output": op8_token_id_output,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
+    "op10_importance_resampling": op10_importance_resampling,
 }
 
 ORACLE_SQL: dict[str, str] = {
