@@ -61,8 +61,9 @@ def struct_array(columns: dict[str, tuple[list, pa.DataType]]) -> pa.Array:
     )
 
 
-def id_bucket(doc_id: Column, buckets: int = 3) -> Column:
+def id_bucket(doc_id: Column | str, buckets: int = 3) -> Column:
     """crc32 of the id as text, modulo ``buckets``."""
+    doc_id = F.col(doc_id) if isinstance(doc_id, str) else doc_id
     return F.crc32(doc_id.cast("string").cast("binary")) % buckets
 
 

@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import ASCII_LOWER, struct_array, text_udf, written
+from tidemark.llm.common import ASCII_LOWER, struct_array, text_udf, without_ids, written
 from tidemark.llm.components import connected_components
 
 BITS, SEGMENTS, MAX_DISTANCE, SHINGLE, SEED = 64, 2, 2, 3, 42
@@ -117,10 +117,11 @@ def keep_representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str
     with a null id cannot be told apart by id, so all of them stay.
     """
     key = "__simhash_id"
-    found = near_duplicates(docs, id_col, text_col, shingle).toDF(key, "__fp", "__component")
-    gone = found.where(F.col(key) != F.col("__component")).select(key).distinct()
-    kept = docs.where(F.col(id_col).isNotNull()).join(gone, docs[id_col] == gone[key], "left_anti")
-    repeats = found.groupBy(key).count().where("count > 1").select(key)
-    once = kept.join(repeats, kept[id_col] == repeats[key], "left_anti")
+    found = written(near_duplicates(docs, id_col, text_col, shingle).toDF(key, "__fp", "__component").where(F.col(key).isNotNull()), "simhash-found")
+    gone = written(found.where(F.col(key) != F.col("__component")).select(key).distinct(), "simhash-gone")
+    kept = without_ids(docs, gone, id_col)
+    repeats = written(found.groupBy(key).count().where("count > 1").select(key), "simhash-repeats")
+    if repeats.isEmpty():
+        return kept
     again = kept.join(repeats, kept[id_col] == repeats[key], "left_semi").dropDuplicates([id_col])
-    return once.unionByName(again).unionByName(docs.where(F.col(id_col).isNull()))
+    return without_ids(kept, repeats, id_col).unionByName(again)
