@@ -27,7 +27,7 @@ class ResamplingRules:
     """Hash buckets, share of rows to keep, seed of the noise, bound on target rows, and how many n-grams'
     evidence a text may bring at most (a longer text's mean log ratio counts as that many)."""
 
-    buckets: int = 1 << 16
+    buckets: int = 1 << 14
     keep: float = 0.8
     seed: int = 11
     fit_rows: int = 40_000
