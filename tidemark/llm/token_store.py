@@ -9,8 +9,8 @@ of ids (row groups and pages outside the range are skipped).
 
 from __future__ import annotations
 
-import re
 import zlib
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -26,8 +26,6 @@ from tidemark.llm.vocabularies import path, pattern
 
 #: Encoded chunks kept in a task; beyond it the cache starts anew (results don't change).
 CACHE_CHUNKS = 400_000
-#: Texts with other white space than single spaces and newlines between words are encoded whole.
-_IRREGULAR = re.compile(r"\s\s|[^\S \n]|\A\s|\s\Z")
 
 
 @dataclass(frozen=True)
@@ -64,7 +62,7 @@ class Encoder:
 
     The byte-level pre-tokeniser always cuts before a single space between two other characters, and
     around a single newline between two other characters, so the chunks between them can be encoded
-    apart and joined. Any other white space sends the whole text to the library.
+    apart and joined. Other white space (double, leading, trailing, tabs) sends the whole text to the library.
     """
 
     def __init__(self, tokenizer: Tokenizer):
@@ -73,51 +71,59 @@ class Encoder:
         self.library = Library.from_file(tokenizer.file)
         self.library.encode_special_tokens = True
         self.end = b"" if tokenizer.end_id is None else np.uint32(tokenizer.end_id).astype("<u4").tobytes()
-        self.chunks: dict[str, bytes] = {}
         self.pieces: dict[str, bytes] = {}
         self.cut = regex.compile(pattern()).findall
+        self.tokenize = self.library.model.tokenize
         # Byte-level vocabularies name printable bytes by themselves and number the others from 256 on.
         printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
         hidden = [b for b in range(256) if b not in set(printable)]
         self.names = {b: chr(b) for b in printable} | {b: chr(256 + i) for i, b in enumerate(hidden)}
-        self.newline = self._whole("\n")
+        #: None: a chunk that must be encoded with its neighbours.
+        self.fixed: dict[str, bytes | None] = {"\n": self._whole("\n"), "": None, " ": None}
+        self.chunks = dict(self.fixed)
 
     def _whole(self, text: str) -> bytes:
-        return np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        return array("I", self.library.encode(text, add_special_tokens=False).ids).tobytes()
 
     def _piece(self, piece: str) -> bytes:
         found = self.pieces.get(piece)
         if found is None:
             if len(self.pieces) > CACHE_CHUNKS:
                 self.pieces.clear()
-            named = piece.encode().decode("latin-1").translate(self.names)
-            found = self.pieces[piece] = np.array([t.id for t in self.library.model.tokenize(named)], "<u4").tobytes()
+            named = piece.encode().decode("latin-1").translate(self.names) if not piece.isascii() else "Ġ" + piece[1:] if piece[0] == " " else piece
+            found = self.pieces[piece] = array("I", [t.id for t in self.tokenize(named)]).tobytes()
         return found
 
-    def _chunk(self, chunk: str) -> bytes:
-        if max(chunk, default="a") < "ɐ":
-            return b"".join(map(self._piece, self.cut(chunk)))
-        return self._whole(chunk)
+    def _chunk(self, chunk: str) -> bytes | None:
+        """The ids of a word, with a blank in front unless it begins a line; None if white space is inside."""
+        word = chunk[1:] if chunk[0] == " " else chunk
+        if not (chunk.isascii() or max(chunk) < "ɐ"):
+            return self._whole(chunk) if word.split() == [word] else None
+        if word.isalpha():
+            return self._piece(chunk)
+        if word[-1] in ".,;:!?" and word[:-1].isalpha():
+            return self._piece(chunk[:-1]) + self._piece(chunk[-1])
+        return b"".join(map(self._piece, self.cut(chunk))) if word.split() == [word] else None
 
     def encode(self, text: str) -> bytes:
         """The ids of ``text`` and the end id as little-endian unsigned 32-bit integers."""
         if not text:
             return self.end
-        if _IRREGULAR.search(text):
-            return self._whole(text) + self.end
-        chunks = text.replace(" ", "\0 ").replace("\n", "\0\n\0").split("\0") if "\0" not in text else None
-        if chunks is None:
+        if "\0" in text:
             return self._whole(text) + self.end
+        chunks = text.replace(" ", "\0 ").replace("\n", "\0\n\0").split("\0")
         known = self.chunks
         new = set(chunks).difference(known)
         if new:
-            if len(known) > CACHE_CHUNKS:
-                known.clear()
-                known["\n"] = self.newline
-                new = set(chunks)
+            if len(known) + len(new) > CACHE_CHUNKS:
+                known = self.chunks = dict(self.fixed)
+                new = set(chunks).difference(known)
             for c in new:
                 known[c] = self._chunk(c)
-        return b"".join(map(known.__getitem__, chunks)) + self.end
+        try:
+            return b"".join(map(known.__getitem__, chunks)) + self.end
+        except TypeError:  # a chunk is None
+            return self._whole(text) + self.end
 
 
 def write_tokens(docs: DataFrame, to: str, tokenizer: Tokenizer | None = None, fmt: TokenFormat | None = None, id_col: str = "doc_id", text_col: str = "text") -> None:
