@@ -17,6 +17,9 @@ from pyspark.sql import functions as F
 #: Lower-cases A-Z and leaves every other byte alone.
 ASCII_LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 
+#: Texts that a task turns into Python objects at a time.
+SLICE = 256
+
 
 def shared_folder(spark: SparkSession, name: str) -> str:
     """A fresh path under the folder that all executors share (``spark.checkpoint.dir``).
@@ -41,14 +44,16 @@ def text_udf(make: Callable[[], Callable[[list], pa.Array]], schema: str):
     """An Arrow UDF over a text column.
 
     ``make`` runs once per task and returns a function from a list of texts (None for null)
-    to an Arrow array of type ``schema``. Marked nondeterministic so that Catalyst keeps one
+    to an Arrow array of type ``schema``; it gets ``SLICE`` texts at a time, which bounds what a task
+    holds as Python objects, and what it returns is joined to one array per Arrow batch. Marked nondeterministic so that Catalyst keeps one
     evaluation where several fields of the result are used.
     """
 
     def apply(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         work = make()
         for batch in batches:
-            yield work(batch.to_pylist())
+            parts = [work(batch.slice(at, SLICE).to_pylist()) for at in range(0, len(batch), SLICE)]
+            yield pa.concat_arrays(parts) if parts else work([])
 
     return F.arrow_udf(apply, schema).asNondeterministic()
 

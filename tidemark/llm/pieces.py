@@ -29,7 +29,7 @@ from tidemark.llm.vocabularies import path
 
 MARK = "▁"
 #: Encoded words kept in a task; beyond it the cache starts anew (results don't change).
-CACHE_WORDS = 400_000
+CACHE_WORDS = 300_000
 UNKNOWN_PENALTY = 10.0
 
 
@@ -128,12 +128,9 @@ class PieceCodec:
 
     def encode_batch(self, texts: list[str]) -> list[bytes]:
         """The ids of every text as little-endian 32-bit integers."""
-        out = []
-        for at in range(0, len(texts), 2000):
-            docs = [self.words(t) for t in texts[at : at + 2000]]
-            self.learn(set(itertools.chain.from_iterable(docs)))
-            out += [b"".join(map(self.known.__getitem__, d)) for d in docs]
-        return out
+        docs = [self.words(t) for t in texts]
+        self.learn(set(itertools.chain.from_iterable(docs)))
+        return [b"".join(map(self.known.__getitem__, d)) for d in docs]
 
     def decode(self, ids: list[int]) -> str:
         """The text of ``ids``; bytes that are no UTF-8 become replacement characters."""
