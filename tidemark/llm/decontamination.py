@@ -49,15 +49,19 @@ class Templates:
 
     def clear(self) -> None:
         self.index: dict[str, int] = {}
-        self.attributes: list[tuple[int, int, bool, bool]] = []
-        self.arrays: tuple = ()
+        self.arrays: tuple = (np.zeros(0, np.uint64), np.zeros(0, np.int8), np.zeros(0, bool), np.zeros(0, bool))
 
     @staticmethod
     def attribute(word: str) -> tuple[int, int, bool, bool]:
         """(hash of the token, placeholder kind or 0, starts like a name, ends a sentence)."""
-        core = _EDGES.sub("", word)
+        if word.isalpha():
+            core = word
+        elif word[-1] in ".,;:!?" and word[:-1].isalpha():
+            core = word[:-1]
+        else:
+            core = _EDGES.sub("", word)
         low = core.lower()
-        kind = 1 if low in NUMBER_WORDS or _NUMBER.match(low) else 3 if low in UNITS else 0
+        kind = 1 if low in NUMBER_WORDS or (not low.isalpha() and _NUMBER.match(low)) else 3 if low in UNITS else 0
         token = {0: low or word, 1: NUMBER, 3: UNIT}[kind]
         named = kind == 0 and len(core) > 1 and core[0].isupper() and core[1:].islower()
         return xxhash.xxh64_intdigest(token.encode()), kind, named, word[-1] in ".!?:;\"'”»" and word[-1] != "'"
@@ -69,9 +73,8 @@ class Templates:
             new = words
         if new:
             self.index.update(zip(new, range(len(self.index), len(self.index) + len(new))))
-            self.attributes.extend(map(self.attribute, new))
-            h, k, n, e = zip(*self.attributes)
-            self.arrays = np.array(h, np.uint64), np.array(k, np.int8), np.array(n), np.array(e)
+            found = zip(*map(self.attribute, new))
+            self.arrays = tuple(np.concatenate([a, np.array(x, a.dtype)]) for a, x in zip(self.arrays, found))
 
     def tokens(self, text: str) -> tuple[list[str], np.ndarray, np.ndarray]:
         """(words, token hashes, placeholder kinds). A word after a sentence's end or a line break is no name."""
