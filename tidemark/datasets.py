@@ -25,8 +25,17 @@ class Dataset:
     depends: tuple[str, ...] = ()
 
 
+def _type(kind: str) -> T.DataType:
+    if kind.startswith("decimal"):
+        digits, places = kind.removeprefix("decimal(").rstrip(")").split(",")
+        return T.DecimalType(int(digits), int(places))
+    simple = {"string": T.StringType, "bigint": T.LongType, "int": T.IntegerType, "smallint": T.ShortType, "date": T.DateType, "timestamp_ntz": T.TimestampNTZType, "boolean": T.BooleanType}
+    return simple[kind]()
+
+
 def _schema(key: str, values: str) -> T.StructType:
-    return T._parse_datatype_string(f"{key}, recorded_at timestamp_ntz, {values}, fetch_id string")
+    fields = f"{key}, recorded_at timestamp_ntz, {values}, fetch_id string".split(", ")
+    return T.StructType([T.StructField(name, _type(kind)) for name, kind in (f.split(" ") for f in fields)])
 
 
 _STOCK = "stock_id string, source string, trade_date date"
