@@ -18,22 +18,22 @@ def local_instant(day: Column, hours: int = 0) -> Column:
 
 
 def exchange_daily_settled(day: Column) -> Column:
-    """03:00 on the day after (rule exchange_daily_settled@1)."""
+    """03:00 on the day after."""
     return local_instant(F.date_add(day, 1), 3)
 
 
 def weekly_sunday_noon(day: Column) -> Column:
-    """12:00 on the first Sunday strictly after (rule tdcc_weekly@1)."""
+    """12:00 on the first Sunday strictly after."""
     return local_instant(F.next_day(day, "Sunday"), 12)
 
 
 def ex_date_midnight(day: Column) -> Column:
-    """00:00 on the ex-date itself (rule corporate_action_ex_date@1)."""
+    """00:00 on the ex-date itself."""
     return local_instant(day, 0)
 
 
 def announcement_next_day(day: Column) -> Column:
-    """00:00 on the next day (rule industry_announcement_next_day@1)."""
+    """00:00 on the next day."""
     return local_instant(F.date_add(day, 1), 0)
 
 

@@ -50,13 +50,13 @@ def actions(spark: SparkSession, sf_dir: str) -> DataFrame:
     stock = (F.col("o_custkey") % 100 + 1).cast("string")
     return o.select(
         stock.alias("stock_id"), F.when((F.col("o_custkey") % 100 + 1) % 2 == 0, "alpha").otherwise("beta").alias("source"), F.col("o_orderdate").cast("date").alias("ex_date"), F.expr("o_orderdate + make_dt_interval(0, o_orderkey % 48, 0, o_orderkey % 3600)").alias("recorded_at"),
-        F.when(F.col("o_orderkey") % 97 != 0, 1 - (F.col("o_orderkey") % 5) / 100.0).alias("event_factor"), (F.col("o_orderkey") % 31 == 0).alias("retracted"), F.floor("o_totalprice").cast("bigint").alias("close_before"), "o_orderkey",
+        F.when(F.col("o_orderkey") % 997 != 0, 1 - (F.col("o_orderkey") % 5) / 1000.0).alias("event_factor"), (F.col("o_orderkey") % 31 == 0).alias("retracted"), F.floor("o_totalprice").cast("bigint").alias("close_before"), "o_orderkey", "o_orderpriority",
     )
 
 
 def events_by_stock(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Few events a stock (every fiftieth order), so that factor products stay far from zero."""
-    return actions(spark, sf_dir).where("o_orderkey % 50 = 1")
+    """The events that change prices: urgent orders."""
+    return actions(spark, sf_dir).where("o_orderpriority = '1-URGENT'")
 
 
 def reports(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -101,8 +101,8 @@ CTE = {
         sum(case event_type when 'purchase' then floor(value * 100)::bigint when 'error' then -floor(value * 100)::bigint end)::bigint as net,
         count(*) filter (event_type = 'view') as volume, max(ts) as recorded_at, count(*) as n_events from events group by 1, 2, 3)""",
     "actions": """actions as (select (o_custkey % 100 + 1)::varchar as stock_id, case when (o_custkey % 100 + 1) % 2 = 0 then 'alpha' else 'beta' end as source, o_orderdate::date as ex_date,
-        o_orderdate + to_hours(o_orderkey % 48) + to_seconds(o_orderkey % 3600) as recorded_at, case when o_orderkey % 97 <> 0 then 1 - (o_orderkey % 5) / 100.0::double end as event_factor,
-        o_orderkey % 31 = 0 as retracted, floor(o_totalprice)::bigint as close_before, o_orderkey from orders)""",
+        o_orderdate + to_hours(o_orderkey % 48) + to_seconds(o_orderkey % 3600) as recorded_at, case when o_orderkey % 997 <> 0 then 1 - (o_orderkey % 5) / 1000.0::double end as event_factor,
+        o_orderkey % 31 = 0 as retracted, floor(o_totalprice)::bigint as close_before, o_orderkey, o_orderpriority from orders)""",
     "reports": """report_base as (select (o_custkey % 100 + 1) as s, year(o_orderdate) as report_year, quarter(o_orderdate) as report_quarter, sum(floor(o_totalprice)::bigint)::bigint as total, count(*) as n from orders group by 1, 2, 3),
         report_ids as (select *, s::varchar as stock_id, s * 100000 + report_year * 10 + report_quarter as id0, last_day(make_date(report_year, report_quarter * 3, 1))::timestamp as pe from report_base),
         reports as (select id0 as id, stock_id, report_year, report_quarter, case when id0 % 3 = 0 then 'individual' else 'consolidated' end as report_category,

@@ -131,13 +131,13 @@ def _(spark, d):
     return metrics.short_interest_metrics(m)
 
 
-@query("rounding_three_ways", """select l_orderkey, l_linenumber, round(l_extendedprice * l_discount / 7, 4) as fifteen_digits, round_even(l_extendedprice / l_quantity * 100.0::double, 0) / 100 as half_even, round((l_extendedprice::decimal(20,2) * 3)::decimal(20,4), 1)::double as half_up from lineitem where l_orderkey % 5 = l_linenumber""")
+@query("rounding_three_ways", """select l_orderkey, l_linenumber, round(l_extendedprice * l_discount / 7, 4) as fifteen_digits, round_even(l_extendedprice / l_quantity * 100.0::double, 0) / 100 as half_even, round((l_extendedprice::decimal(20,2) * 3)::decimal(20,4), 1)::double as half_up from lineitem""")
 def _(spark, d):
-    li = table(spark, d, "lineitem").where("l_orderkey % 5 = l_linenumber")
+    li = table(spark, d, "lineitem")
     return li.select("l_orderkey", "l_linenumber", round_15_digits(F.col("l_extendedprice") * F.col("l_discount") / 7).alias("fifteen_digits"), round_half_even_scaled(F.col("l_extendedprice") / F.col("l_quantity")).alias("half_even"), round_half_up((F.col("l_extendedprice").cast("decimal(20,2)") * 3).cast("decimal(20,4)"), 1).cast("double").alias("half_up"))
 
 
-_EVENTS = f"""{with_('bars', 'actions')}, ev as (select * from actions where o_orderkey % 50 = 1), last as (select stock_id, source, max(trade_date) as z from bars group by 1, 2)"""
+_EVENTS = f"""{with_('bars', 'actions')}, ev as (select * from actions where o_orderpriority = '1-URGENT'), last as (select stock_id, source, max(trade_date) as z from bars group by 1, 2)"""
 _FACTOR = f"""{_EVENTS}, f as (select b.stock_id, b.source, b.trade_date, any_value(b.close) as close, case when count(*) filter (e.ex_date is not null and e.event_factor is null) = 0 then coalesce(product(e.event_factor), 1) end as factor
     from bars b join last l using (stock_id, source) left join ev e on e.stock_id = b.stock_id and e.source = b.source and e.ex_date > b.trade_date and e.ex_date <= l.z group by 1, 2, 3)"""
 

@@ -23,7 +23,7 @@ def day(text):
 # Listing events: signups and errors of users, one a day and kind; the market by user.
 def listing_events(spark, d):
     e = table(spark, d, "events")
-    one = e.where("event_type in ('signup', 'error') and event_id % 4 = 0").groupBy((F.col("user_id") % 1000).cast("string").alias("stock_id"), F.when(F.col("user_id") % 2 == 0, "sii").otherwise("otc").alias("market"), F.col("ts").cast("date").alias("on_date"), "event_type").agg(F.min("event_id").alias("i"))
+    one = e.where("event_type in ('signup', 'error')").groupBy((F.col("user_id") % 1000).cast("string").alias("stock_id"), F.when(F.col("user_id") % 2 == 0, "sii").otherwise("otc").alias("market"), F.col("ts").cast("date").alias("on_date"), "event_type").agg(F.min("event_id").alias("i"))
     rows = one.select("stock_id", "market", "on_date", F.concat(F.lit("n"), F.col("i").cast("string")).alias("name"), F.when(F.col("i") % 7 == 0, "innovation board").otherwise("").alias("note"), F.col("i").cast("string").alias("fetch_id"), "event_type")
     return rows.where("event_type = 'signup'").drop("event_type"), rows.where("event_type = 'error'").drop("event_type")
 
@@ -40,7 +40,7 @@ def lookups(spark, d):
     return e.select((u % 1000).cast("string").alias("stock_id"), F.concat(F.lit("k"), u.cast("string")).alias("name"), F.lit("x").alias("industry"), F.when(u % 5 == 0, "fund").otherwise("stock").alias("category"), F.when(u % 6 != 0, F.date_add(day("2023-12-20"), (u % 30).cast("int"))).alias("registered_on"))
 
 
-_LIST = """with ev as (select (user_id % 1000)::varchar as stock_id, case when user_id % 2 = 0 then 'sii' else 'otc' end as market, ts::date as on_date, event_type, min(event_id) as i from events where event_type in ('signup', 'error') and event_id % 4 = 0 group by 1, 2, 3, 4),
+_LIST = """with ev as (select (user_id % 1000)::varchar as stock_id, case when user_id % 2 = 0 then 'sii' else 'otc' end as market, ts::date as on_date, event_type, min(event_id) as i from events where event_type in ('signup', 'error') group by 1, 2, 3, 4),
     e2 as (select *, case when event_type = 'signup' then 1 else 0 end as up from ev), ep as (select *, coalesce(sum(1 - up) over (partition by stock_id, market order by on_date, up rows between unbounded preceding and 1 preceding), 0) as episode from e2),
     pairs as (select stock_id, market, any_value(ep.episode)::int as episode, max(on_date) filter (up = 1) as listed_on, max(on_date) filter (up = 0) as delisted_on, arg_max(i, on_date) filter (up = 1) as note_i,
         case when count(*) filter (up = 1) > 1 then 'listed_twice' when count(*) filter (up = 1) = 0 and any_value(ep.episode) > 0 then 'delisted_twice' end as problem from ep group by stock_id, market, ep.episode),
@@ -77,12 +77,11 @@ def _(spark, d):
     return decided(spark, d)
 
 
-@query("span_company_identity", f"""{_DECIDE}, k as (select stock_id, bool_or(by_lookup) as b from decided where decision = 'span' group by 1), last as (select stock_id, arg_max('n' || i, on_date::varchar || market || (1 - up)::varchar) as n from e2 group by 1)
-    select k.stock_id, case when t.stock_id is not null then t.name when b and l.stock_id is not null then l.name else last.n end as name from k left join today t using (stock_id) left join look l using (stock_id) left join last using (stock_id) where not exists (select 1 from e2 x join e2 y using (stock_id, on_date) where x.up <> y.up and x.stock_id = k.stock_id)""")
+@query("span_company_identity", f"""{_DECIDE}, k as (select stock_id, bool_or(by_lookup) as b from decided where decision = 'span' group by 1), last as (select stock_id, arg_max('n' || i, on_date::varchar || market || 'n' || i) as n from e2 group by 1)
+    select k.stock_id, case when t.stock_id is not null then t.name when b and l.stock_id is not null then l.name else last.n end as name from k left join today t using (stock_id) left join look l using (stock_id) left join last using (stock_id)""")
 def _(spark, d):
     up, down = listing_events(spark, d)
-    both = up.select("stock_id", "on_date").join(down.select("stock_id", "on_date"), ["stock_id", "on_date"]).select("stock_id").distinct()
-    return spans.company_identity(decided(spark, d), today(spark, d), lookups(spark, d), up, down).select("stock_id", "name").join(both, "stock_id", "left_anti")
+    return spans.company_identity(decided(spark, d), today(spark, d), lookups(spark, d), up, down).select("stock_id", "name")
 
 
 def span_table(spark, d):
@@ -112,7 +111,7 @@ def _(spark, d):
 
 def changes(spark, d):
     """Category changes from errors: old and new category by event, announced three days before, re-announced for some."""
-    e = table(spark, d, "events").where("event_type = 'error' and event_id % 3 = 0")
+    e = table(spark, d, "events").where("event_type = 'error'")
     i = F.col("event_id")
     g = e.groupBy(F.col("user_id").cast("string").alias("stock_id"), F.col("ts").cast("date").alias("effective_date")).agg(F.min("event_id").alias("event_id"))
     base = g.select("stock_id", F.lit("notice").alias("source"), "effective_date", F.date_sub("effective_date", 3).alias("announced_on"), (i % 5).cast("string").alias("old_industry"), (i % 4 + 1).cast("string").alias("new_industry"), (F.date_sub("effective_date", 3).cast("timestamp_ntz") + F.expr("interval 20 hours")).alias("recorded_at"), "event_id")
@@ -120,7 +119,7 @@ def changes(spark, d):
     return base.unionByName(again).drop("event_id")
 
 
-_CHG = """chg0 as (select user_id::varchar as stock_id, ts::date as effective_date, min(event_id) as i from events where event_type = 'error' and event_id % 3 = 0 group by 1, 2),
+_CHG = """chg0 as (select user_id::varchar as stock_id, ts::date as effective_date, min(event_id) as i from events where event_type = 'error' group by 1, 2),
     chg as (select stock_id, effective_date, effective_date - 3 as announced_on, (i % 5)::varchar as old_industry, (i % 4 + 1)::varchar as new_industry, (effective_date - 3)::timestamp + interval 20 hour as recorded_at from chg0
         union all select stock_id, effective_date, effective_date - 3, (i % 5)::varchar, (i % 3 + 1)::varchar, effective_date::timestamp + interval 30 hour from chg0 where i % 2 = 0),
     cv0 as (select *, (announced_on + 1)::timestamp - interval 8 hour as released from chg), cv as (select *, case when recorded_at >= released and recorded_at > min(case when recorded_at >= released then recorded_at end) over (partition by stock_id, effective_date) then recorded_at else released end as available_at from cv0)"""
@@ -240,11 +239,11 @@ def _(spark, d):
     return x.select("id", F.coalesce(F.size("facts"), F.lit(0)).cast("bigint").alias("n_facts"), F.aggregate("facts", F.lit(0).cast("bigint"), lambda a, f: a + f["value"]).alias("total_value"))
 
 
-_CAL = "cal as (select distinct l_shipdate::date as trade_date from lineitem where l_orderkey % 40 = 0)"
+_CAL = "cal as (select distinct l_shipdate::date as trade_date from lineitem where isodow(l_shipdate) <> 7)"
 
 
 def calendar(spark, d):
-    return table(spark, d, "lineitem").where("l_orderkey % 40 = 0").select(F.col("l_shipdate").cast("date").alias("trade_date")).distinct()
+    return table(spark, d, "lineitem").where("dayofweek(l_shipdate) <> 1").select(F.col("l_shipdate").cast("date").alias("trade_date")).distinct()
 
 
 @query("panel_calendar_range", days="trade_date", sql=f"with {_CAL} select trade_date from cal where trade_date between date '1996-02-01' and date '1996-09-30'")
@@ -393,13 +392,13 @@ def _(spark, d):
 
 
 @query("reconcile_indicators", f"""{with_('bars')}, i as (select *, row_number() over (partition by stock_id, source order by trade_date) as i, volume % 97 = 0 as dr, day(trade_date) = 13 as fr from bars),
-    f as (select *, max(case when dr then i end) over w as ld, max(case when fr then i end) over w as lf from i window w as (partition by stock_id, source order by trade_date rows unbounded preceding)), m as (select f.*, metric, len, case when volume % 3 = 0 then 0.0000001 when volume % 3 = 1 then 0.01 else 5 end as gap from f, (values ('ma5', 5), ('vma20', 20), ('macd_dif', null)) t(metric, len) where volume % 10 = 0)
+    f as (select *, max(case when dr then i end) over w as ld, max(case when fr then i end) over w as lf from i window w as (partition by stock_id, source order by trade_date rows unbounded preceding)), m as (select f.*, metric, len, case when volume % 3 = 0 then 0.0000001 when volume % 3 = 1 then 0.01 else 5 end as gap from f, (values ('ma5', 5), ('vma20', 20), ('macd_dif', null)) t(metric, len))
     select metric, case when stock_id::int % 50 = 1 then 'market_transfer' when ld is not null and (len is null or i - ld < len) then 'dropped_no_trade_days' when metric = 'vma20' and lf is not null and i - lf < 20 then 'frozen_volume' else 'unexplained' end as diff_class, case when gap < 1e-6 then 'below_1e-6' when gap < 1 then 'below_1' else 'at_or_above_1' end as magnitude, count(*) as n from m group by 1, 2, 3""")
 def _(spark, d):
     b = bars(spark, d)
     axis = b.select(*KEY, (F.col("volume") % 97 == 0).alias("dropped"), (F.dayofmonth("trade_date") == 13).alias("frozen"))
     gap = F.when(F.col("volume") % 3 == 0, 1e-7).when(F.col("volume") % 3 == 1, 0.01).otherwise(5.0)
-    diff = b.where("volume % 10 = 0").select(*KEY, F.explode(F.array(F.lit("ma5"), F.lit("vma20"), F.lit("macd_dif"))).alias("metric"), F.lit(0.0).alias("ours"), gap.alias("theirs"))
+    diff = b.select(*KEY, F.explode(F.array(F.lit("ma5"), F.lit("vma20"), F.lit("macd_dif"))).alias("metric"), F.lit(0.0).alias("ours"), gap.alias("theirs"))
     transfers = b.where("cast(stock_id as int) % 50 = 1").select("stock_id")
     return reconcile.indicator_classes(diff, axis, {"ma5": 5, "vma20": 20}, transfers).groupBy("metric", "diff_class", "magnitude").agg(F.count("*").alias("n"))
 
@@ -418,7 +417,7 @@ def _(spark, d):
     return reconcile.valuation_classes(b.where("volume % 41 <> 0"), other_copy(spark, d), alternative, KEY, "volume").groupBy("diff_class").agg(F.count("*").alias("n"))
 
 
-_GAPS = f"""{with_('bars', 'actions')}, cal as (select trade_date, row_number() over (order by trade_date) as s from (select distinct trade_date from bars)), ev as (select distinct stock_id, source, ex_date from actions where o_orderkey % 50 = 1), sp as (select distinct stock_id, date '1996-01-02' as listed_on from bars where stock_id::int % 3 = 0 and exists (select 1 from cal where trade_date = date '1996-01-02')),
+_GAPS = f"""{with_('bars', 'actions')}, cal as (select trade_date, row_number() over (order by trade_date) as s from (select distinct trade_date from bars)), ev as (select distinct stock_id, source, ex_date from actions where o_orderpriority = '1-URGENT'), sp as (select distinct stock_id, date '1996-01-02' as listed_on from bars where stock_id::int % 3 = 0 and exists (select 1 from cal where trade_date = date '1996-01-02')),
     p as (select *, lag(trade_date) over w as pd, lag(close) over w as pc, min(trade_date) over (partition by stock_id, source) as f from bars window w as (partition by stock_id, source order by trade_date)),
     g as (select p.*, c.s - c2.s as k, close / pc as r, c.s - cf.s + 1 as since_first, case when listed_on <= p.trade_date then c.s - cl.s + 1 end as since_listed, case when listed_on <= p.trade_date then listed_on end as lo, exists (select 1 from ev where ev.stock_id = p.stock_id and ev.source = p.source and ex_date > pd and ex_date <= p.trade_date) as e
         from p join cal c on c.trade_date = p.trade_date join cal c2 on c2.trade_date = pd join cal cf on cf.trade_date = f left join sp on sp.stock_id = p.stock_id left join cal cl on cl.trade_date = listed_on where pc <> 0),
@@ -435,7 +434,7 @@ def _(spark, d):
     return x.groupBy("reason", "detail").agg(F.count("*").alias("n"), F.sum("sessions").alias("sessions"))
 
 
-@query("reconcile_event_continuity", days="ex_date", sql=f"""{with_('bars', 'actions')}, ev as (select * from actions where o_orderkey % 50 = 1) select e.stock_id, e.source, e.ex_date, e.close_before::double as close_before, b.close as previous_close, coalesce(e.close_before::double = b.close, false) as continuous from ev e asof left join bars b on b.stock_id = e.stock_id and b.source = e.source and e.ex_date > b.trade_date""")
+@query("reconcile_event_continuity", days="ex_date", sql=f"""{with_('bars', 'actions')}, ev as (select * from actions where o_orderpriority = '1-URGENT') select e.stock_id, e.source, e.ex_date, e.close_before::double as close_before, b.close as previous_close, coalesce(e.close_before::double = b.close, false) as continuous from ev e asof left join bars b on b.stock_id = e.stock_id and b.source = e.source and e.ex_date > b.trade_date""")
 def _(spark, d):
     return reconcile.event_continuity(events_by_stock(spark, d), bars(spark, d))
 
