@@ -37,8 +37,22 @@ def rolling_deviation(column: str, n: int, series: Sequence[str] = SERIES, date:
 
 
 def moving_averages(bars: DataFrame, series: Sequence[str] = SERIES, date: str = "trade_date") -> DataFrame:
-    """``ma{n}`` of close and ``vma{n}`` of volume for all windows, in one sort of the series."""
-    return bars.select("*", *[moving_average("close", n, series, date).alias(f"ma{n}") for n in WINDOWS], *[moving_average("volume", n, series, date).alias(f"vma{n}") for n in WINDOWS])
+    """``ma{n}`` of close and ``vma{n}`` of volume for all windows, in one sort of the series.
+
+    Running decimal sums and counts are taken once and each window is a difference of two of them, so a row costs
+    the same whatever the windows' lengths; decimals make the differences exact."""
+    w = Window.partitionBy(*series).orderBy(date)
+    run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    sums = []
+    for c in ("close", "volume"):
+        sums += [F.coalesce(F.sum(F.col(c).cast("decimal(20,6)")).over(run), F.lit(0).cast("decimal(30,6)")).alias(f"__{c}_s"), F.count(c).over(run).alias(f"__{c}_n")]
+    out = []
+    for c, name in (("close", "ma"), ("volume", "vma")):
+        for n in WINDOWS:
+            before = lambda x: F.coalesce(F.lag(f"__{c}_{x}", n).over(w), F.lit(0))  # noqa: B023, E731
+            full = F.col(f"__{c}_n") - before("n") == n
+            out.append(F.when(full, (F.col(f"__{c}_s") - before("s")).cast("double") / n).alias(f"{name}{n}"))
+    return bars.select("*", *sums).select(*bars.columns, *out)
 
 
 def bollinger(bars: DataFrame, n: int = 20, width: float = 2.0, series: Sequence[str] = SERIES, date: str = "trade_date") -> DataFrame:

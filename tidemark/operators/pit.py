@@ -113,13 +113,22 @@ def rolling_segments(available: DataFrame, series: Sequence[str], date: str, rul
     return cuts.withColumn("__starts", (first | F.col("__cut")).cast("int")).withColumn("segment", F.sum("__starts").over(w)).select(*series, date, "segment")
 
 
-def rolling_as_of(available: DataFrame, series: Sequence[str], date: str, rule: Rule, compute: Callable[[DataFrame, list[str]], DataFrame]) -> DataFrame:
+def rolling_as_of(available: DataFrame, series: Sequence[str], date: str, rule: Rule, compute: Callable[[DataFrame, list[str]], DataFrame], lookback: int | None = None) -> DataFrame:
     """Each date's metrics as the market saw them at that date's own release instant.
 
     Versions are joined with the segments (equal series, available by the segment's last instant, date not after its
-    last date), the latest per date is kept, and ``compute(rows, series + ["segment"])`` runs once per segment.
+    last date), the latest per date is kept, and ``compute(rows, series + ["segment"])`` runs once per segment. Metrics that
+    reach back a fixed number of dates name it as ``lookback``: a version then meets only the segments within its reach, by an
+    equality join on the date's number, instead of every later segment of the series.
     """
     segments = rolling_segments(available, series, date, rule)
+    if lookback:
+        axis = segments.withColumn("__i", F.row_number().over(Window.partitionBy(*series).orderBy(date)))
+        cutoffs = axis.withColumn("__cutoff", rule(F.max(date).over(Window.partitionBy(*series, "segment")))).select(*series, F.col("__i").alias("__j"), "segment", "__cutoff")
+        placed = available.join(axis.drop("segment"), [*series, date]).withColumn("__j", F.explode(F.sequence("__i", F.col("__i") + lookback - 1))).drop("__i")
+        near = placed.join(cutoffs, [*series, "__j"]).where(F.col("available_at") <= F.col("__cutoff")).drop("__j", "__cutoff")
+        visible = latest_per_key(near, [*series, "segment", date])
+        return compute(visible, [*series, "segment"]).join(segments, [*series, "segment", date], "left_semi").drop("segment")
     spans = segments.groupBy(*series, "segment").agg(F.max(date).alias("__last")).withColumn("__cutoff", rule(F.col("__last")))
     seen = available.join(spans, list(series)).where((F.col("available_at") <= F.col("__cutoff")) & (F.col(date) <= F.col("__last")))
     visible = latest_per_key(seen.drop("__last", "__cutoff"), [*series, "segment", date])

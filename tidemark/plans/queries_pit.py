@@ -127,7 +127,7 @@ def _(spark, d):
         qualify row_number() over (partition by a.stock_id, a.source, a.trade_date, v.trade_date order by v.recorded_at desc) = 1)
     select stock_id, source, seen_on as trade_date, round(case when count(*) = 5 then sum(close::decimal(28,6))::double / 5 end, 6) as ma5 from seen group by 1, 2, 3""")
 def _(spark, d):
-    return pit.rolling_as_of(available(spark, d), SERIES, "trade_date", DAILY, lambda rows, by: rows.select(*by, "trade_date", F.round(metrics.moving_average("close", 5, by), 6).alias("ma5")))
+    return pit.rolling_as_of(available(spark, d), SERIES, "trade_date", DAILY, lambda rows, by: rows.select(*by, "trade_date", F.round(metrics.moving_average("close", 5, by), 6).alias("ma5")), lookback=5)
 
 
 @query("pit_lineage", days="trade_date", sql=f"""{with_('versions')}, v as (select * from versions qualify row_number() over (partition by stock_id, source, trade_date order by recorded_at desc) = 1)
