@@ -24,8 +24,8 @@ from pyspark.sql.types import ArrayType, IntegerType, LongType, StructField, Str
 from tidemark.llm.common import shared_folder
 from tidemark.llm.vocabularies import path, pattern
 
-#: Encoded chunks kept in a task; beyond it the cache starts anew (results don't change).
-CACHE_CHUNKS = 400_000
+#: Encoded chunks and pieces kept in a worker; beyond it a cache starts anew (results don't change).
+CACHE_CHUNKS = 300_000
 
 
 @dataclass(frozen=True)
@@ -57,6 +57,18 @@ class Tokenizer:
     end_id: int | None = 2
 
 
+class _Cache(dict):
+    """Values made on first use."""
+
+    def __init__(self, make, start=()):
+        super().__init__(start)
+        self.make = make
+
+    def __missing__(self, key):
+        value = self[key] = self.make(key)
+        return value
+
+
 class Encoder:
     """Whole-text encoding with the tokenizers library, one library call per distinct chunk.
 
@@ -71,7 +83,7 @@ class Encoder:
         self.library = Library.from_file(tokenizer.file)
         self.library.encode_special_tokens = True
         self.end = b"" if tokenizer.end_id is None else np.uint32(tokenizer.end_id).astype("<u4").tobytes()
-        self.pieces: dict[str, bytes] = {}
+        self.pieces = _Cache(self._piece)
         self.cut = regex.compile(pattern()).findall
         self.tokenize = self.library.model.tokenize
         # Byte-level vocabularies name printable bytes by themselves and number the others from 256 on.
@@ -80,30 +92,29 @@ class Encoder:
         self.names = {b: chr(b) for b in printable} | {b: chr(256 + i) for i, b in enumerate(hidden)}
         #: None: a chunk that must be encoded with its neighbours.
         self.fixed: dict[str, bytes | None] = {"\n": self._whole("\n"), "": None, " ": None}
-        self.chunks = dict(self.fixed)
+        self.chunks = _Cache(self._chunk, self.fixed)
 
     def _whole(self, text: str) -> bytes:
         return array("I", self.library.encode(text, add_special_tokens=False).ids).tobytes()
 
     def _piece(self, piece: str) -> bytes:
-        found = self.pieces.get(piece)
-        if found is None:
-            if len(self.pieces) > CACHE_CHUNKS:
-                self.pieces.clear()
-            named = piece.encode().decode("latin-1").translate(self.names) if not piece.isascii() else "Ġ" + piece[1:] if piece[0] == " " else piece
-            found = self.pieces[piece] = array("I", [t.id for t in self.tokenize(named)]).tobytes()
-        return found
+        if piece.isascii():
+            named = "Ġ" + piece[1:] if piece[0] == " " else piece
+        else:
+            named = piece.encode().decode("latin-1").translate(self.names)
+        return array("I", [t.id for t in self.tokenize(named)]).tobytes()
 
     def _chunk(self, chunk: str) -> bytes | None:
         """The ids of a word, with a blank in front unless it begins a line; None if white space is inside."""
         word = chunk[1:] if chunk[0] == " " else chunk
         if not (chunk.isascii() or max(chunk) < "ɐ"):
             return self._whole(chunk) if word.split() == [word] else None
+        pieces = self.pieces
         if word.isalpha():
-            return self._piece(chunk)
+            return pieces[chunk]
         if word[-1] in ".,;:!?" and word[:-1].isalpha():
-            return self._piece(chunk[:-1]) + self._piece(chunk[-1])
-        return b"".join(map(self._piece, self.cut(chunk))) if word.split() == [word] else None
+            return pieces[chunk[:-1]] + pieces[chunk[-1]]
+        return b"".join([pieces[p] for p in self.cut(chunk)]) if word.split() == [word] else None
 
     def encode(self, text: str) -> bytes:
         """The ids of ``text`` and the end id as little-endian unsigned 32-bit integers."""
@@ -112,20 +123,27 @@ class Encoder:
         if "\0" in text:
             return self._whole(text) + self.end
         chunks = text.replace(" ", "\0 ").replace("\n", "\0\n\0").split("\0")
-        known = self.chunks
-        new = set(chunks).difference(known)
-        if new:
-            if len(known) + len(new) > CACHE_CHUNKS:
-                known = self.chunks = dict(self.fixed)
-                new = set(chunks).difference(known)
-            for c in new:
-                known[c] = self._chunk(c)
+        if len(self.chunks) > CACHE_CHUNKS:
+            self.chunks = _Cache(self._chunk, self.fixed)
+        if len(self.pieces) > CACHE_CHUNKS:
+            self.pieces = _Cache(self._piece)
         try:
-            return b"".join(map(known.__getitem__, chunks)) + self.end
+            return b"".join(map(self.chunks.__getitem__, chunks)) + self.end
         except TypeError:  # a chunk is None
             return self._whole(text) + self.end
 
 
+_ENCODERS: dict[Tokenizer, Encoder] = {}
+
+
+def _encoder(tokenizer: Tokenizer) -> Encoder:
+    """The worker's encoder, which keeps its caches from task to task."""
+    if tokenizer not in _ENCODERS:
+        _ENCODERS.clear()
+        _ENCODERS[tokenizer] = Encoder(tokenizer)
+    return _ENCODERS[tokenizer]
+
+
 def write_tokens(docs: DataFrame, to: str, tokenizer: Tokenizer | None = None, fmt: TokenFormat | None = None, id_col: str = "doc_id", text_col: str = "text") -> None:
     """Encode every row of ``docs`` (null text: empty) and write shards in ascending id order to ``to``.
 
@@ -137,7 +155,7 @@ def write_tokens(docs: DataFrame, to: str, tokenizer: Tokenizer | None = None, f
     schema = pa.schema([("doc_id", pa.int64()), ("tokens", pa.list_(pa.int32())), ("n_tokens", pa.int64()), ("shard_start", pa.int64())])
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, start = Encoder(tokenizer), 0
+        encoder, start = _encoder(tokenizer), 0
         for batch in batches:
             for at in range(0, batch.num_rows, 1000):
                 part = batch.slice(at, 1000)
