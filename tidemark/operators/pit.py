@@ -85,8 +85,8 @@ def derived_available_at(rows: DataFrame, late: DataFrame, series: Sequence[str]
     cols = rows.columns
     marked = rows.select(*cols, F.lit(None).cast("timestamp_ntz").alias("late_at"), F.lit(1).alias("__row"))
     events = late.select(*[F.col(c) if c in (*series, date) else F.lit(None).cast(rows.schema[c].dataType).alias(c) for c in cols], "late_at", F.lit(0).alias("__row"))
-    w = Window.partitionBy(*series).orderBy(date, "__row").rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    running = marked.unionByName(events).withColumn("late_at", F.max("late_at").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    w = Window.partitionBy(*series).orderBy(date, "__row").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    running = marked.unionByName(events).withColumn("late_at", F.max("late_at").over(w))
     return running.where("__row = 1").withColumn("available_at", F.greatest(own, F.col("late_at"))).drop("late_at", "__row")
 
 

@@ -2,10 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from tidemark.functions.instants import announcement_next_day
 from tidemark.operators import metrics, panel, pit, reconcile, spans
 from tidemark.plans.panels import bars, events_by_stock, facts, flows, reports, table, versions, with_
 from tidemark.plans.queries_metrics import _LEVELS, _Q, levels

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import instants
 from tidemark.operators import append, metrics, pit
-from tidemark.plans.panels import actions, facts, flows, reports, table, versions, with_
+from tidemark.plans.panels import actions, facts, reports, table, versions, with_
 from tidemark.plans.registry import query
 
 KEY = ["stock_id", "source", "trade_date"]

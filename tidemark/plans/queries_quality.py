@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import scalar
 from tidemark.operators import append, validate
-from tidemark.plans.panels import actions, bars, facts, flows, reports, table, versions, with_
+from tidemark.plans.panels import actions, bars, facts, flows, reports, table, with_
 from tidemark.plans.queries_metrics import _LEVELS, levels
 from tidemark.plans.registry import query
 from tidemark.sources import payloads, tables
