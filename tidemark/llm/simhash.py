@@ -116,8 +116,13 @@ def keep_representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str
     Every column of ``docs`` is kept as it is. Of several rows with that smallest id one stays. Rows
     with a null id cannot be told apart by id, so all of them stay.
     """
+    return keep_least(docs, near_duplicates(docs, id_col, text_col, shingle).select(id_col, "component_id"), id_col)
+
+
+def keep_least(docs: DataFrame, classes: DataFrame, id_col: str) -> DataFrame:
+    """``docs`` with one row of each component of ``classes`` (id, component_id), as ``keep_representatives`` describes."""
     key = "__simhash_id"
-    found = written(near_duplicates(docs, id_col, text_col, shingle).toDF(key, "__fp", "__component").where(F.col(key).isNotNull()), "simhash-found")
+    found = written(classes.toDF(key, "__component").where(F.col(key).isNotNull()), "simhash-found")
     gone = written(found.where(F.col(key) != F.col("__component")).select(key).distinct(), "simhash-gone")
     kept = without_ids(docs, gone, id_col)
     repeats = written(found.groupBy(key).count().where("count > 1").select(key), "simhash-repeats")
