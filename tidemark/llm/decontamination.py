@@ -29,6 +29,8 @@ _EDGES = re.compile(r"\A[^\w$€£%°+-]+|[^\w%°]+\Z")
 #: Template tokens kept in a task; beyond it the cache starts anew (results don't change).
 CACHE_WORDS = 300_000
 FILTER_BITS = 24
+#: Added to the seed of windows that are hashed with their values.
+EXACT = 1 << 32
 
 
 @dataclass(frozen=True)
@@ -49,11 +51,11 @@ class Templates:
 
     def clear(self) -> None:
         self.index: dict[str, int] = {}
-        self.arrays: tuple = (np.zeros(0, np.uint64), np.zeros(0, np.int8), np.zeros(0, bool), np.zeros(0, bool))
+        self.arrays: tuple = (np.zeros(0, np.uint64), np.zeros(0, np.int8), np.zeros(0, bool), np.zeros(0, bool), np.zeros(0, np.uint64))
 
     @staticmethod
-    def attribute(word: str) -> tuple[int, int, bool, bool]:
-        """(hash of the token, placeholder kind or 0, starts like a name, ends a sentence)."""
+    def attribute(word: str) -> tuple[int, int, bool, bool, int]:
+        """(hash of the token, placeholder kind or 0, starts like a name, ends a sentence, hash of the word itself)."""
         if word.isalpha():
             core = word
         elif word[-1] in ".,;:!?" and word[:-1].isalpha():
@@ -64,7 +66,7 @@ class Templates:
         kind = 1 if low in NUMBER_WORDS or (not low.isalpha() and _NUMBER.match(low)) else 3 if low in UNITS else 0
         token = {0: low or word, 1: NUMBER, 3: UNIT}[kind]
         named = kind == 0 and len(core) > 1 and core[0].isupper() and core[1:].islower()
-        return xxhash.xxh64_intdigest(token.encode()), kind, named, word[-1] in ".!?:;\"'”»" and word[-1] != "'"
+        return xxhash.xxh64_intdigest(token.encode()), kind, named, word[-1] in ".!?:;\"'”»" and word[-1] != "'", xxhash.xxh64_intdigest((low or word).encode())
 
     def learn(self, words: set[str]) -> None:
         new = words.difference(self.index)
@@ -76,50 +78,68 @@ class Templates:
             found = zip(*map(self.attribute, new))
             self.arrays = tuple(np.concatenate([a, np.array(x, a.dtype)]) for a, x in zip(self.arrays, found))
 
-    def tokens(self, text: str) -> tuple[list[str], np.ndarray, np.ndarray]:
-        """(words, token hashes, placeholder kinds). A word after a sentence's end or a line break is no name."""
+    def tokens(self, text: str) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray]:
+        """(words, token hashes, placeholder kinds, hashes of the words themselves). A word after a sentence's end or a line break is no name."""
         words, starts = [], []
         for line in text.split("\n"):
             if parts := line.split():
                 starts.append(len(words))
                 words += parts
         at = np.fromiter(map(self.index.__getitem__, words), np.int64, len(words))
-        hashes, kinds, named, ends = (a[at] for a in self.arrays)
+        hashes, kinds, named, ends, exact = (a[at] for a in self.arrays)
         first = np.concatenate([[True], ends[:-1]])
         first[starts] = True
         name = named & ~first
-        return words, np.where(name, np.uint64(xxhash.xxh64_intdigest(NAME.encode())), hashes), np.where(name, 2, kinds)
+        return words, np.where(name, np.uint64(xxhash.xxh64_intdigest(NAME.encode())), hashes), np.where(name, 2, kinds), exact
 
-    def windows(self, text: str) -> list[tuple[int, int, list[str]]]:
-        """(position, hash, slot values) of the text's windows, only those that the filter lets through."""
-        words, hashes, kinds = self.tokens(text)
+    @staticmethod
+    def mixed(hashes: np.ndarray, at: np.ndarray | slice, size: int, n: int, seed: int) -> np.ndarray:
+        """Hashes of the windows of ``size`` tokens at the positions ``at`` of the first ``n``."""
+        h = np.full(n, seed, np.uint64)[at]
+        for j in range(size):
+            h = (h ^ hashes[j : j + n][at]) * np.uint64(0x9E3779B97F4A7C15)
+            h ^= h >> np.uint64(29)
+        return h
+
+    def passing(self, h: np.ndarray) -> np.ndarray:
+        if self.keep is None:
+            return np.ones(len(h), bool)
+        low = h & np.uint64((1 << FILTER_BITS) - 1)
+        return (self.keep[low >> np.uint64(3)] >> (low & np.uint64(7)).astype(np.uint8)) & 1 == 1
+
+    def windows(self, text: str) -> list[tuple[int, int, list[str], bool]]:
+        """(position, hash, slot values, enough literals) of the text's windows, only those that the filter lets through.
+
+        A window with too few literal words is hashed with its values, so it matches word for word only.
+        """
+        words, hashes, kinds, exact = self.tokens(text)
         out = []
         literal = np.concatenate([[0], np.cumsum(kinds == 0)])
         for size in self.sizes:
             n = len(words) - size + 1
             if n < 1:
                 continue
-            h = np.full(n, size, np.uint64)
-            for j in range(size):
-                h = (h ^ hashes[j : j + n]) * np.uint64(0x9E3779B97F4A7C15)
-                h ^= h >> np.uint64(29)
-            ok = literal[size:] - literal[:-size] >= min(self.rules.min_literals, size - 1)
-            if self.keep is not None:
-                low = h & np.uint64((1 << FILTER_BITS) - 1)
-                ok &= (self.keep[low >> np.uint64(3)] >> (low & np.uint64(7)).astype(np.uint8)) & 1 == 1
-            for p in np.flatnonzero(ok).tolist():
-                slots = [f"{kinds[i]}{_EDGES.sub('', words[i]).lower()}" for i in range(p, p + size) if kinds[i]]
-                out.append((p, int(h[p].view(np.int64)), slots))
+            rich = literal[size:] - literal[:-size] >= min(self.rules.min_literals, size - 1)
+            h = self.mixed(hashes, slice(None), size, n, size)
+            if not rich.all():
+                poor = np.flatnonzero(~rich)
+                h[poor] = self.mixed(exact, poor, size, n, size + EXACT)
+            for p in np.flatnonzero(self.passing(h)).tolist():
+                out.append((p, int(h[p].view(np.int64)), self.slots(words, kinds, p, size), bool(rich[p])))
         return out
 
+    @staticmethod
+    def slots(words: list[str], kinds: np.ndarray, p: int, size: int) -> list[str]:
+        return [f"{kinds[i]}{_EDGES.sub('', words[i]).lower()}" for i in range(p, p + size) if kinds[i]]
+
     def batch(self, texts: list) -> list:
         texts = [t or "" for t in texts]
         self.learn({w for t in texts for w in t.split()})
-        return [[{"pos": p, "hash": h, "slots": s} for p, h, s in self.windows(t)] if t.strip() else [] for t in texts]
+        return [[{"pos": p, "hash": h, "slots": s, "rich": r} for p, h, s, r in self.windows(t)] if t.strip() else [] for t in texts]
 
 
-WINDOW = "array<struct<pos: int, hash: bigint, slots: array<string>>>"
-_ARROW = pa.list_(pa.struct([("pos", pa.int32()), ("hash", pa.int64()), ("slots", pa.list_(pa.string()))]))
+WINDOW = "array<struct<pos: int, hash: bigint, slots: array<string>, rich: boolean>>"
+_ARROW = pa.list_(pa.struct([("pos", pa.int32()), ("hash", pa.int64()), ("slots", pa.list_(pa.string())), ("rich", pa.bool_())]))
 
 
 def _windows(rows: DataFrame, id_col: str, text_col: str, rules: TemplateRules, sizes: list[int], keep: np.ndarray | None) -> DataFrame:
@@ -135,7 +155,7 @@ def _windows(rows: DataFrame, id_col: str, text_col: str, rules: TemplateRules,
         return work
 
     found = rows.select(F.col(id_col).alias(f"{id_col}_"), F.explode(text_udf(make, WINDOW)(F.col(text_col))).alias("w"))
-    return found.select(F.col(f"{id_col}_").alias(id_col), "w.pos", "w.hash", "w.slots")
+    return found.select(F.col(f"{id_col}_").alias(id_col), "w.pos", "w.hash", "w.slots", "w.rich")
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, rules: TemplateRules | None = None, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
@@ -144,7 +164,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame, rules: TemplateRules | None = N
     Documents are read whole and once. Their windows first pass a bit filter of fixed size (2 MB) built
     from the benchmark's windows, so that what is joined by hash is near the true matches; the join itself
     is exact and left to Spark (it may broadcast a benchmark below its own size threshold). Items shorter than a
-    window are matched as one window of their own length (three words at least). Null texts and ids of items
+    window are matched as one window of their own length (three words at least). ``coverage`` is the share of matched windows among all of the item or
+    among those with enough literal words, whichever is greater: the others match word for word only. Null texts and ids of items
     match nothing; null document ids are kept as one group; repeated rows and items count once. Other
     columns are not read.
     """
@@ -161,8 +182,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame, rules: TemplateRules | None = N
     keep[keys] = 1
     keep = np.packbits(keep, bitorder="little")
     found = _windows(docs.where(F.col(text_col).isNotNull()), id_col, text_col, rules, [rules.window, *sorted(short)], keep).withColumnRenamed(id_col, "doc_id")
-    ours = whole.select("item_id", F.col("pos").alias("item_pos"), "hash", F.col("slots").alias("item_slots"))
-    hits = written(found.join(ours, "hash").select("doc_id", "item_id", "item_pos", (F.col("pos") - F.col("item_pos")).alias("shift"), "slots", "item_slots"), "benchmark-hits")
+    ours = whole.select("item_id", F.col("pos").alias("item_pos"), "hash", F.col("slots").alias("item_slots"), F.col("rich").alias("item_rich"))
+    hits = written(found.join(ours, "hash").select("doc_id", "item_id", "item_pos", (F.col("pos") - F.col("item_pos")).alias("shift"), "slots", "item_slots", "item_rich"), "benchmark-hits")
     pairs = hits.select("doc_id", "item_id", "shift", F.explode(F.arrays_zip("item_slots", "slots")).alias("z")).select("doc_id", "item_id", "shift", F.col("z.item_slots").alias("x"), F.col("z.slots").alias("y")).distinct()
     key = ["doc_id", "item_id", "shift"]
     one = pairs.groupBy(*key, "x").agg(F.count("*").alias("n")).where("n > 1").select(*key)
@@ -170,9 +191,11 @@ def leaks(docs: DataFrame, benchmark: DataFrame, rules: TemplateRules | None = N
     torn = one.unionByName(two).distinct().select(*[F.col(c).alias(f"t_{c}") for c in key])
     same = F.col("doc_id").eqNullSafe(F.col("t_doc_id")) & (F.col("item_id") == F.col("t_item_id")) & (F.col("shift") == F.col("t_shift"))
     sound = hits.join(torn, same, "left_anti")
-    windows = whole.select("item_id", "pos").distinct().groupBy("item_id").agg(F.count("*").alias("item_windows"))
-    matched = sound.groupBy("doc_id", "item_id").agg(F.countDistinct("item_pos").alias("matched_windows"), F.max(F.col("slots") != F.col("item_slots")).alias("reparameterised"))
-    out = matched.join(windows, "item_id").withColumn("coverage", F.col("matched_windows") / F.col("item_windows"))
+    own = whole.groupBy("item_id", "pos").agg(F.max("rich").alias("rich"))
+    windows = own.groupBy("item_id").agg(F.count("*").alias("item_windows"), F.count_if("rich").alias("rich_windows"))
+    matched = sound.groupBy("doc_id", "item_id").agg(F.countDistinct("item_pos").alias("matched_windows"), F.countDistinct(F.when(F.col("item_rich"), F.col("item_pos"))).alias("rich_matched"), F.max(F.col("slots") != F.col("item_slots")).alias("reparameterised"))
+    share = F.greatest(F.col("matched_windows") / F.col("item_windows"), F.when(F.col("rich_windows") > 0, F.col("rich_matched") / F.col("rich_windows")))
+    out = matched.join(windows, "item_id").withColumn("coverage", share)
     return out.where(F.col("coverage") >= rules.min_coverage).select(F.col("doc_id").alias(id_col), F.col("item_id").alias(item_col), "matched_windows", "item_windows", "coverage", "reparameterised")
 
 
