@@ -12,3 +12,9 @@ def test_items_with_few_literal_words(spark):
     items = ["What is 15 % of 80 ?", "Convert 5 km to m.", "A 5 km run takes 30 minutes at 10 km / h"]
     docs = [*[f"Some words before it. {x} And some after it." for x in items], "Some words. What is 20 % of 80 ? And Convert 6 km to m. too"]
     assert found(spark, docs, items) == {(0, 0), (1, 1), (2, 2)}
+
+
+def test_names_that_begin_sentences(spark):
+    item = "Maria has 12 apples. Maria eats 3 of them. How many remain?"
+    docs = ["We ask. Ahmed has 40 apples. Ahmed eats 7 of them. How many remain? That is all.", "We ask. Ahmed has 40 pears. Ahmed sells 7 of them. How much remains? That is all."]
+    assert found(spark, docs, [item]) == {(0, 0)}

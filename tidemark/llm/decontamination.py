@@ -1,6 +1,6 @@
 """Benchmark decontamination by template canonicalisation.
 
-Words become template tokens: numbers, names (capitalised inside a sentence) and units turn into typed
+Words become template tokens: numbers, names (capitalised inside a sentence; at its beginning both readings) and units turn into typed
 placeholders, other words lose their case and outer punctuation. Windows of template tokens are
 hashed and joined between benchmark items and documents. A re-parameterised question shares the
 template; it counts as a leak if the slots agree: along one alignment each value of the item stands
@@ -23,7 +23,10 @@ from tidemark.llm.common import text_udf, without_ids, written
 #: Number words and units that become placeholders.
 NUMBER_WORDS = frozenset("two three four five six seven eight nine ten eleven twelve twenty thirty forty fifty hundred thousand million".split())
 UNITS = frozenset("km m cm mm mi ft kg g mg lb oz l ml s min h hours hour minutes minute seconds days weeks months years dollars euros cents usd eur mph kmh km/h °c °f % $ € £".split())
+#: Words that begin sentences without being names.
+COMMON = frozenset("a an the this that these those it he she they we you i his her their our your my its how what when where which who whose why if in on at by for from with to of and or but so as after before during each every all some many most there then not no is are was were do does did can could would should find give let calculate convert write given".split())
 NUMBER, NAME, UNIT = "\x01num", "\x01name", "\x01unit"
+NAME_HASH = np.uint64(xxhash.xxh64_intdigest(NAME.encode()))
 _NUMBER = re.compile(r"[-+]?[$€£]?\d[\d.,:/]*(?:st|nd|rd|th|%|[a-zµ]{1,3})?\Z")
 _EDGES = re.compile(r"\A[^\w$€£%°+-]+|[^\w%°]+\Z")
 #: Template tokens kept in a task; beyond it the cache starts anew (results don't change).
@@ -51,11 +54,11 @@ class Templates:
 
     def clear(self) -> None:
         self.index: dict[str, int] = {}
-        self.arrays: tuple = (np.zeros(0, np.uint64), np.zeros(0, np.int8), np.zeros(0, bool), np.zeros(0, bool), np.zeros(0, np.uint64))
+        self.arrays: tuple = (np.zeros(0, np.uint64), np.zeros(0, np.int8), np.zeros(0, bool), np.zeros(0, bool), np.zeros(0, np.uint64), np.zeros(0, bool))
 
     @staticmethod
-    def attribute(word: str) -> tuple[int, int, bool, bool, int]:
-        """(hash of the token, placeholder kind or 0, starts like a name, ends a sentence, hash of the word itself)."""
+    def attribute(word: str) -> tuple[int, int, bool, bool, int, bool]:
+        """(hash of the token, placeholder kind or 0, starts like a name, ends a sentence, hash of the word itself, is a common word)."""
         if word.isalpha():
             core = word
         elif word[-1] in ".,;:!?" and word[:-1].isalpha():
@@ -66,7 +69,7 @@ class Templates:
         kind = 1 if low in NUMBER_WORDS or (not low.isalpha() and _NUMBER.match(low)) else 3 if low in UNITS else 0
         token = {0: low or word, 1: NUMBER, 3: UNIT}[kind]
         named = kind == 0 and len(core) > 1 and core[0].isupper() and core[1:].islower()
-        return xxhash.xxh64_intdigest(token.encode()), kind, named, word[-1] in ".!?:;\"'”»" and word[-1] != "'", xxhash.xxh64_intdigest((low or word).encode())
+        return xxhash.xxh64_intdigest(token.encode()), kind, named, word[-1] in ".!?:;\"'”»" and word[-1] != "'", xxhash.xxh64_intdigest((low or word).encode()), low in COMMON
 
     def learn(self, words: set[str]) -> None:
         new = words.difference(self.index)
@@ -78,19 +81,22 @@ class Templates:
             found = zip(*map(self.attribute, new))
             self.arrays = tuple(np.concatenate([a, np.array(x, a.dtype)]) for a, x in zip(self.arrays, found))
 
-    def tokens(self, text: str) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray]:
-        """(words, token hashes, placeholder kinds, hashes of the words themselves). A word after a sentence's end or a line break is no name."""
+    def tokens(self, text: str) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(words, token hashes, placeholder kinds, hashes of the words themselves, possible names).
+
+        A capitalised word after a sentence's end or a line break is a literal, and a possible name if it isn't a common word.
+        """
         words, starts = [], []
         for line in text.split("\n"):
             if parts := line.split():
                 starts.append(len(words))
                 words += parts
         at = np.fromiter(map(self.index.__getitem__, words), np.int64, len(words))
-        hashes, kinds, named, ends, exact = (a[at] for a in self.arrays)
+        hashes, kinds, named, ends, exact, common = (a[at] for a in self.arrays)
         first = np.concatenate([[True], ends[:-1]])
         first[starts] = True
         name = named & ~first
-        return words, np.where(name, np.uint64(xxhash.xxh64_intdigest(NAME.encode())), hashes), np.where(name, 2, kinds), exact
+        return words, np.where(name, NAME_HASH, hashes), np.where(name, 2, kinds), exact, named & first & ~common
 
     @staticmethod
     def mixed(hashes: np.ndarray, at: np.ndarray | slice, size: int, n: int, seed: int) -> np.ndarray:
@@ -107,14 +113,19 @@ class Templates:
         low = h & np.uint64((1 << FILTER_BITS) - 1)
         return (self.keep[low >> np.uint64(3)] >> (low & np.uint64(7)).astype(np.uint8)) & 1 == 1
 
-    def windows(self, text: str) -> list[tuple[int, int, list[str], bool]]:
-        """(position, hash, slot values, enough literals) of the text's windows, only those that the filter lets through.
+    def windows(self, text: str) -> list[tuple[int, int, list[str], bool, bool]]:
+        """(position, hash, slot values, enough literals, second reading) of the text's windows, only those that the filter lets through.
 
-        A window with too few literal words is hashed with its values, so it matches word for word only.
+        A window with too few literal words is hashed with its values, so it matches word for word only. A window
+        with possible names that begin sentences is read twice: with these as literals and with these as names.
         """
-        words, hashes, kinds, exact = self.tokens(text)
+        words, hashes, kinds, exact, initial = self.tokens(text)
         out = []
         literal = np.concatenate([[0], np.cumsum(kinds == 0)])
+        again = initial.any()
+        if again:
+            opened = np.concatenate([[0], np.cumsum(initial)])
+            named_hashes, named_kinds = np.where(initial, NAME_HASH, hashes), np.where(initial, 2, kinds)
         for size in self.sizes:
             n = len(words) - size + 1
             if n < 1:
@@ -125,7 +136,14 @@ class Templates:
                 poor = np.flatnonzero(~rich)
                 h[poor] = self.mixed(exact, poor, size, n, size + EXACT)
             for p in np.flatnonzero(self.passing(h)).tolist():
-                out.append((p, int(h[p].view(np.int64)), self.slots(words, kinds, p, size), bool(rich[p])))
+                out.append((p, int(h[p].view(np.int64)), self.slots(words, kinds, p, size), bool(rich[p]), False))
+            if again:
+                names = opened[size:] - opened[:-size]
+                at = np.flatnonzero((names > 0) & (literal[size:] - literal[:-size] - names >= min(self.rules.min_literals, size - 1)))
+                h = self.mixed(named_hashes, at, size, n, size)
+                for k in np.flatnonzero(self.passing(h)).tolist():
+                    p = int(at[k])
+                    out.append((p, int(h[k].view(np.int64)), self.slots(words, named_kinds, p, size), True, True))
         return out
 
     @staticmethod
@@ -135,11 +153,11 @@ class Templates:
     def batch(self, texts: list) -> list:
         texts = [t or "" for t in texts]
         self.learn({w for t in texts for w in t.split()})
-        return [[{"pos": p, "hash": h, "slots": s, "rich": r} for p, h, s, r in self.windows(t)] if t.strip() else [] for t in texts]
+        return [[{"pos": p, "hash": h, "slots": s, "rich": r, "named": m} for p, h, s, r, m in self.windows(t)] if t.strip() else [] for t in texts]
 
 
-WINDOW = "array<struct<pos: int, hash: bigint, slots: array<string>, rich: boolean>>"
-_ARROW = pa.list_(pa.struct([("pos", pa.int32()), ("hash", pa.int64()), ("slots", pa.list_(pa.string())), ("rich", pa.bool_())]))
+WINDOW = "array<struct<pos: int, hash: bigint, slots: array<string>, rich: boolean, named: boolean>>"
+_ARROW = pa.list_(pa.struct([("pos", pa.int32()), ("hash", pa.int64()), ("slots", pa.list_(pa.string())), ("rich", pa.bool_()), ("named", pa.bool_())]))
 
 
 def _windows(rows: DataFrame, id_col: str, text_col: str, rules: TemplateRules, sizes: list[int], keep: np.ndarray | None) -> DataFrame:
@@ -155,7 +173,7 @@ def _windows(rows: DataFrame, id_col: str, text_col: str, rules: TemplateRules,
         return work
 
     found = rows.select(F.col(id_col).alias(f"{id_col}_"), F.explode(text_udf(make, WINDOW)(F.col(text_col))).alias("w"))
-    return found.select(F.col(f"{id_col}_").alias(id_col), "w.pos", "w.hash", "w.slots", "w.rich")
+    return found.select(F.col(f"{id_col}_").alias(id_col), "w.pos", "w.hash", "w.slots", "w.rich", "w.named")
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, rules: TemplateRules | None = None, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
@@ -182,14 +200,14 @@ def leaks(docs: DataFrame, benchmark: DataFrame, rules: TemplateRules | None = N
     keep[keys] = 1
     keep = np.packbits(keep, bitorder="little")
     found = _windows(docs.where(F.col(text_col).isNotNull()), id_col, text_col, rules, [rules.window, *sorted(short)], keep).withColumnRenamed(id_col, "doc_id")
-    ours = whole.select("item_id", F.col("pos").alias("item_pos"), "hash", F.col("slots").alias("item_slots"), F.col("rich").alias("item_rich"))
-    hits = written(found.join(ours, "hash").select("doc_id", "item_id", "item_pos", (F.col("pos") - F.col("item_pos")).alias("shift"), "slots", "item_slots", "item_rich"), "benchmark-hits")
-    pairs = hits.select("doc_id", "item_id", "shift", F.explode(F.arrays_zip("item_slots", "slots")).alias("z")).select("doc_id", "item_id", "shift", F.col("z.item_slots").alias("x"), F.col("z.slots").alias("y")).distinct()
-    key = ["doc_id", "item_id", "shift"]
+    ours = whole.select("item_id", F.col("pos").alias("item_pos"), "hash", F.col("slots").alias("item_slots"), F.col("rich").alias("item_rich"), F.col("named").alias("item_named"))
+    hits = written(found.join(ours, "hash").select("doc_id", "item_id", "item_pos", (F.col("pos") - F.col("item_pos")).alias("shift"), F.concat(F.col("named").cast("string"), F.col("item_named").cast("string")).alias("way"), "slots", "item_slots", "item_rich"), "benchmark-hits")
+    pairs = hits.select("doc_id", "item_id", "shift", "way", F.explode(F.arrays_zip("item_slots", "slots")).alias("z")).select("doc_id", "item_id", "shift", "way", F.col("z.item_slots").alias("x"), F.col("z.slots").alias("y")).distinct()
+    key = ["doc_id", "item_id", "shift", "way"]
     one = pairs.groupBy(*key, "x").agg(F.count("*").alias("n")).where("n > 1").select(*key)
     two = pairs.groupBy(*key, "y").agg(F.count("*").alias("n")).where("n > 1").select(*key)
     torn = one.unionByName(two).distinct().select(*[F.col(c).alias(f"t_{c}") for c in key])
-    same = F.col("doc_id").eqNullSafe(F.col("t_doc_id")) & (F.col("item_id") == F.col("t_item_id")) & (F.col("shift") == F.col("t_shift"))
+    same = F.col("doc_id").eqNullSafe(F.col("t_doc_id")) & (F.col("item_id") == F.col("t_item_id")) & (F.col("shift") == F.col("t_shift")) & (F.col("way") == F.col("t_way"))
     sound = hits.join(torn, same, "left_anti")
     own = whole.groupBy("item_id", "pos").agg(F.max("rich").alias("rich"))
     windows = own.groupBy("item_id").agg(F.count("*").alias("item_windows"), F.count_if("rich").alias("rich_windows"))
