@@ -18,3 +18,10 @@ def test_names_that_begin_sentences(spark):
     item = "Maria has 12 apples. Maria eats 3 of them. How many remain?"
     docs = ["We ask. Ahmed has 40 apples. Ahmed eats 7 of them. How many remain? That is all.", "We ask. Ahmed has 40 pears. Ahmed sells 7 of them. How much remains? That is all."]
     assert found(spark, docs, [item]) == {(0, 0)}
+
+
+def test_conflicting_values(spark):
+    item = "a farmer sells 12 red apples at the old market and then keeps 12 green pears for the long cold winter while the children count all baskets"
+    merged = "a baker moves 3 loaves from the first shelf to the top and 4 rolls from the second shelf to the floor"
+    docs = [f"so {item.replace('12', '13', 1)} it was", f"so {merged.replace('3', '5').replace('4', '5')} it was", f"so {item.replace('12', '13', 1).replace('a farmer', 'a man')} it was"]
+    assert found(spark, docs, [item, merged]) == {(0, 0), (1, 1), (2, 0)}
