@@ -6,9 +6,9 @@ lattice: look-alike digits and signs may stand for letters, signs may be separat
 letter may stand for one or two. Viterbi finds the most likely path under a character trigram
 model; the restored words are then scored beside the plain ones.
 
-Learnt from labelled texts: the character model, the lexicon (words and word beginnings with
-significantly more toxic than clean texts, and their log odds), and a logistic calibration over the
-lexicon's hits.
+Learnt from all texts: the character model. Learnt from labelled texts: the lexicon (words and word
+beginnings with significantly more toxic than clean texts, and their log odds), and a logistic
+calibration over the lexicon's hits.
 """
 
 from __future__ import annotations
@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import id_bucket, sample_rows, text_udf, written
+from tidemark.llm.common import SLICE, id_bucket, sample_rows, text_udf, written
 from tidemark.llm.language_id import held_out
 
 #: Letters that a digit or sign may stand for.
@@ -197,24 +197,37 @@ def _lexicon(words: DataFrame, toxic: int, clean: int, rules: ToxicityRules) ->
     return {r.word: r.odds for r in chosen.orderBy(F.desc("evidence"), "word").limit(rules.max_lexicon).collect()}
 
 
-def _trigrams(words: DataFrame, lexicon: dict[str, float], rules: ToxicityRules) -> tuple[dict[str, float], float]:
-    """Character trigram log probabilities of the words, lexicon words filled up to their share of the weight.
+def _trigrams(texts: DataFrame, lexicon: dict[str, float], rules: ToxicityRules) -> tuple[dict[str, float], float]:
+    """Character trigram log probabilities of all words of ``texts`` (text), lexicon words filled up to their share of the weight.
 
     Only trigrams over letters reach the driver: their number is bounded by the alphabet, not by the rows.
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: Counter = Counter()
+        tokens: Counter = Counter()
+
+        def spread() -> None:
+            for token, n in tokens.items():
+                word = plain(token)
+                if word.isalpha():
+                    padded = f"^^{word}$"
+                    for i in range(len(padded) - 2):
+                        total[padded[i : i + 3]] += n
+            tokens.clear()
+
         for batch in batches:
-            for word in batch.column(0).to_pylist():
-                if word.endswith("~"):
-                    continue
-                padded = f"^^{word}$"
-                total.update(padded[i : i + 3] for i in range(len(padded) - 2))
+            column = batch.column(0)
+            for at in range(0, len(column), SLICE):
+                for text in column.slice(at, SLICE).to_pylist():
+                    tokens.update((text or "").split())
+                if len(tokens) > CACHE_TOKENS:
+                    spread()
+        spread()
         if total:
             yield pa.RecordBatch.from_arrays([pa.array(list(total)), pa.array(list(total.values()), pa.int64())], ["gram", "n"])
 
-    table = words.select("word").mapInArrow(count, "gram string, n bigint").groupBy("gram").agg(F.sum("n").alias("n")).where("n > 1")
+    table = texts.select("text").mapInArrow(count, "gram string, n bigint").groupBy("gram").agg(F.sum("n").alias("n"))
     grams = Counter({r.gram: float(r.n) for r in table.collect()})
     extra: Counter = Counter()
     for word in lexicon:
@@ -240,7 +253,7 @@ def fit(docs: DataFrame, labels: DataFrame, rules: ToxicityRules | None = None)
     """Learn from the labelled rows of ``labels`` (doc_id, toxic), at most about ``rules.fit_rows`` of them.
 
     The rows are chosen by the hash of their id; their number is the proven bound of what is broadcast to
-    the one scan of the texts. Null labels and null texts teach nothing.
+    the scan of the labelled texts. The character model counts every text of ``docs``, labelled or not. Null labels and null texts teach nothing.
     """
     rules = rules or ToxicityRules()
     chosen = sample_rows(labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull()).select("doc_id", F.col("toxic").cast("int").alias("toxic")).dropDuplicates(["doc_id"]), "doc_id", rules.fit_rows)
@@ -250,7 +263,7 @@ def fit(docs: DataFrame, labels: DataFrame, rules: ToxicityRules | None = None)
         return ToxicityModel({}, math.log(1e-4), {}, (-4.0 if not n.toxic else 4.0, 0.0, 0.0, 0.0))
     words = written(_word_table(texts), "toxicity-words")
     lexicon = _lexicon(words, n.toxic, n.n - n.toxic, rules)
-    trigrams, floor = _trigrams(words, lexicon, rules)
+    trigrams, floor = _trigrams(docs, lexicon, rules)
     model = ToxicityModel(trigrams, floor, lexicon, ())
 
     def make():
