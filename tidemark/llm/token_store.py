@@ -9,6 +9,7 @@ of ids (row groups and pages outside the range are skipped).
 
 from __future__ import annotations
 
+import re
 import zlib
 from array import array
 from collections.abc import Iterator
@@ -51,10 +52,12 @@ class TokenFormat:
 
 @dataclass(frozen=True)
 class Tokenizer:
-    """A tokenizer file and the id that ends every document (None: no end id)."""
+    """A tokenizer file, the id that ends every document (None: no end id), and whether the strings of
+    special tokens in a text are ordinary text (by default they become the special ids, as in the library)."""
 
     file: str = field(default_factory=lambda: path("byte_bpe_50k.json"))
     end_id: int | None = 2
+    special_as_text: bool = False
 
 
 class _Cache(dict):
@@ -74,14 +77,18 @@ class Encoder:
 
     The byte-level pre-tokeniser always cuts before a single space between two other characters, and
     around a single newline between two other characters, so the chunks between them can be encoded
-    apart and joined. Other white space (double, leading, trailing, tabs) sends the whole text to the library.
+    apart and joined. Other white space (double, leading, trailing, tabs) and strings of added tokens send the whole
+    text to the library.
     """
 
     def __init__(self, tokenizer: Tokenizer):
         from tokenizers import Tokenizer as Library
 
         self.library = Library.from_file(tokenizer.file)
-        self.library.encode_special_tokens = True
+        self.library.encode_special_tokens = tokenizer.special_as_text
+        #: Strings that the library takes out of a text before anything else; texts with one go to it whole.
+        added = [t.content for t in self.library.get_added_tokens_decoder().values() if not (t.special and tokenizer.special_as_text)]
+        self.added = re.compile("|".join(map(re.escape, added)) or r"(?!)").search
         self.end = b"" if tokenizer.end_id is None else np.uint32(tokenizer.end_id).astype("<u4").tobytes()
         self.pieces = _Cache(self._piece)
         self.cut = regex.compile(pattern()).findall
@@ -120,7 +127,7 @@ class Encoder:
         """The ids of ``text`` and the end id as little-endian unsigned 32-bit integers."""
         if not text:
             return self.end
-        if "\0" in text:
+        if "\0" in text or self.added(text):
             return self._whole(text) + self.end
         chunks = text.replace(" ", "\0 ").replace("\n", "\0\n\0").split("\0")
         if len(self.chunks) > CACHE_CHUNKS:
