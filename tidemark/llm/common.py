@@ -6,6 +6,8 @@ is the word rule; every operator of this subpackage uses it.
 
 from __future__ import annotations
 
+import math
+import re
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -24,10 +26,13 @@ SLICE = 256
 def shared_folder(spark: SparkSession, name: str) -> str:
     """A fresh path under the folder that all executors share (``spark.checkpoint.dir``).
 
-    Where the session names none (tests), a local temporary folder is set once.
+    Where the session names none, a local temporary folder is set once if the master is local (tests); on a
+    cluster, where executors would write to their own disks, this is an error.
     """
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="spark-shared-"))
         base = spark.sparkContext.getCheckpointDir()
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
@@ -40,6 +45,16 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def spread(df: DataFrame, rows: int, *keys: str) -> DataFrame:
+    """A written table ``df`` over a number of partitions that follows its row count: about ``rows`` rows each.
+
+    For narrow rows that later work widens: adaptive execution judges partitions by their bytes and would
+    leave them in a few tasks, but keeps a number that is asked for.
+    """
+    n = max(1, math.ceil(df.count() / rows))
+    return df.repartition(n, *keys)
+
+
 def text_udf(make: Callable[[], Callable[[list], pa.Array]], schema: str):
     """An Arrow UDF over a text column.
 

@@ -1,9 +1,11 @@
 """Quality rules from tokeniser fertility.
 
-Public vocabularies measure every text: characters per token under each vocabulary, the shares of
-byte-fallback tokens and of tokens made of symbols alone, and the entropy of the token distribution. Each script has a rejection band
-per measure; a text outside one of its bands is rejected. Counting rules (too few words, repeated
-three-word windows) come first.
+Public vocabularies measure every text: characters per token under a piece vocabulary and under a byte-level
+one, the share of byte fallback under both (byte pieces; tokens of one character or of a part of one, which is
+what a byte-level vocabulary falls back to), and the entropy of the byte-level tokens, as the mean over stretches of
+``STRETCH`` tokens, so that it doesn't grow with the text. Each language (or script, where languages are unknown or
+rare) has a rejection band per measure, fitted to the quartiles of the table's own texts; a text outside one of
+its bands is rejected. Counting rules (too few words, repeated three-word windows) come first.
 
 Measures are taken over words (see ``common``), each encoded on its own with its leading space
 mark, so a word costs one tokeniser call per task however often it occurs.
@@ -12,8 +14,9 @@ mark, so a word costs one tokeniser call per task however often it occurs.
 from __future__ import annotations
 
 import base64
-import math
+from collections.abc import Mapping
 from dataclasses import dataclass, field
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -22,48 +25,64 @@ import tiktoken
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import struct_array, text_udf
+from tidemark.llm.common import struct_array, text_udf, written
 from tidemark.llm.vocabularies import path, pattern
 
 SYMBOLS = b"#*$%&|<>"
-#: Punctuation of ordinary prose; a token of other signs only counts as a symbol token.
-PROSE_SIGNS = frozenset(".,;:!?'\"()-…–—«»„“”‘’¿¡、。，！？：；「」（）")
 #: Words kept in a task's encoding cache; beyond it the cache starts anew (results don't change).
 CACHE_WORDS = 400_000
+#: Tokens of a stretch whose entropy is measured.
+STRETCH = 100
+#: The measures with a band.
+MEASURES = ("chars_per_piece", "chars_per_byte_token", "piece_fallback", "byte_fallback", "token_entropy")
+#: Up to this many rows of bands are broadcast (100 bytes a row or so); beyond it the join is a shuffle.
+BROADCAST_BANDS = 10_000
 
 
 @dataclass(frozen=True)
-class Band:
-    """Accepted ranges of one script. Entropy is relative to its maximum, log2 of the token count."""
+class Fence:
+    """The band of a measure: quartiles moved out by ``reach`` interquartile ranges, by ``least`` at least, on the named sides."""
 
-    piece_chars: tuple[float, float]
-    byte_chars: tuple[float, float]
-    max_fallback: float = 0.2
-    max_symbols: float = 0.05
-    min_entropy: float = 0.35
+    least: float
+    below: bool = True
+    above: bool = True
 
 
-def _bands() -> dict[str, Band]:
+def _fences() -> dict[str, Fence]:
     return {
-        "latin": Band((1.5, 12.0), (1.5, 12.0)),
-        "cyrillic": Band((1.2, 8.0), (0.5, 4.0)),
-        "greek": Band((0.7, 6.0), (0.4, 4.0), 0.5),
-        "cjk": Band((0.3, 4.0), (0.25, 3.0), 0.95, 0.1),
-        "other": Band((0.2, 8.0), (0.2, 6.0), 1.0, 0.1),
-        "none": Band((1.0, 12.0), (1.0, 12.0), 0.2, 0.1),
+        "chars_per_piece": Fence(0.15),
+        "chars_per_byte_token": Fence(0.15),
+        "piece_fallback": Fence(0.02, below=False),
+        "byte_fallback": Fence(0.04, below=False),
+        "token_entropy": Fence(0.25),
+    }
+
+
+def _wide_bands() -> dict[str, tuple[tuple[float, float], ...]]:
+    """Script -> bands of ``MEASURES`` where the table has too few texts to fit them."""
+    return {
+        "latin": ((1.5, 12.0), (1.5, 12.0), (0.0, 0.2), (0.0, 0.7), (3.5, 6.65)),
+        "cyrillic": ((1.2, 8.0), (0.5, 8.0), (0.0, 0.2), (0.0, 0.7), (3.5, 6.65)),
+        "greek": ((0.7, 6.0), (0.4, 6.0), (0.0, 0.5), (0.0, 0.95), (3.0, 6.65)),
+        "cjk": ((0.3, 4.0), (0.25, 4.0), (0.0, 0.95), (0.0, 1.0), (2.5, 6.65)),
+        "other": ((0.2, 8.0), (0.2, 8.0), (0.0, 1.0), (0.0, 1.0), (2.5, 6.65)),
+        "none": ((1.0, 12.0), (1.0, 12.0), (0.0, 0.2), (0.0, 1.0), (2.5, 6.65)),
     }
 
 
 @dataclass(frozen=True)
 class FertilityRules:
-    """Parameters of the rules. Entropy is judged from ``entropy_tokens`` tokens on."""
+    """Parameters of the rules. A language or script of fewer than ``min_texts`` texts has no bands of its own:
+    a language takes its script's, a script the wide ones."""
 
     min_words: int = 50
     max_repeat_percent: int = 50
     piece_vocabulary: str = field(default_factory=lambda: path("piece_bpe_32k.model"))
-    byte_vocabulary: str = field(default_factory=lambda: path("byte_bpe_50k.tiktoken"))
-    bands: dict[str, Band] = field(default_factory=_bands)
-    entropy_tokens: int = 100
+    byte_vocabulary: str = field(default_factory=lambda: path("byte_bpe_multi_50k.tiktoken"))
+    reach: float = 3.0
+    min_texts: int = 200
+    fences: Mapping[str, Fence] = field(default_factory=_fences)
+    wide: Mapping[str, tuple] = field(default_factory=_wide_bands)
 
 
 def script_of(text: str) -> str:
@@ -106,22 +125,31 @@ def duplicate_lines(text: str) -> int:
 
 
 class _Fertility:
-    """Token ids of words under the piece vocabulary and token counts under the byte vocabulary."""
+    """Piece counts and byte-level token ids of words."""
 
     def __init__(self, rules: FertilityRules):
         self.pieces = sentencepiece.SentencePieceProcessor(model_file=rules.piece_vocabulary)
         lines = open(rules.byte_vocabulary, "rb").read().splitlines()
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
         self.bytes = tiktoken.Encoding("byte-vocabulary", pat_str=pattern(), mergeable_ranks=ranks, special_tokens={})
-        self.fallback = np.array([self.pieces.is_byte(i) or self.pieces.is_unknown(i) for i in range(self.pieces.get_piece_size())])
-        names = [self.pieces.id_to_piece(i).replace("▁", "") for i in range(self.pieces.get_piece_size())]
-        self.symbol = np.array([bool(x) and not any(c.isalnum() or c in PROSE_SIGNS for c in x) for x in names])
-        self.symbol[:3] = False
+        size = self.pieces.get_piece_size()
+        self.piece_fell = np.array([self.pieces.is_byte(i) or self.pieces.is_unknown(i) for i in range(size)])
+        self.byte_fell = np.zeros(max(ranks.values()) + 1, bool)
+        self.byte_fell[[n for token, n in ranks.items() if self.bare(token)]] = True
         self.clear()
 
+    @staticmethod
+    def bare(token: bytes) -> bool:
+        """Whether a byte-level token holds one character at most, or a part of one."""
+        try:
+            return len(token.decode().strip(" ")) <= 1
+        except UnicodeDecodeError:
+            return True
+
     def clear(self) -> None:
         self.index: dict[bytes, int] = {}
-        self.starts, self.ids, self.byte_counts = np.zeros(1, np.int64), np.zeros(0, np.int32), np.zeros(0, np.int32)
+        self.starts, self.ids = np.zeros(1, np.int64), np.zeros(0, np.int32)
+        self.counts = np.zeros((2, 0), np.int32)
 
     def learn(self, docs: list[list[bytes]]) -> None:
         if len(self.index) > CACHE_WORDS:
@@ -131,102 +159,174 @@ class _Fertility:
             return
         self.index.update(zip(new, range(len(self.index), len(self.index) + len(new))))
         strings = [w.decode() for w in new]
-        encoded = self.pieces.encode(strings, num_threads=1)
-        sizes = np.fromiter(map(len, encoded), np.int64, len(encoded))
-        flat = np.fromiter((i for x in encoded for i in x), np.int32, int(sizes.sum()))
+        pieces = self.pieces.encode(strings, num_threads=1)
+        sizes = np.fromiter(map(len, pieces), np.int64, len(pieces))
+        fell = np.add.reduceat(self.piece_fell[np.fromiter((i for x in pieces for i in x), np.int32)].astype(np.int32), np.cumsum(sizes) - sizes)
+        self.counts = np.concatenate([self.counts, [sizes, fell]], axis=1)
+        encode = self.bytes.encode_ordinary
+        tokens = [encode(" " + w) for w in strings]
+        sizes = np.fromiter(map(len, tokens), np.int64, len(tokens))
         self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(sizes)])
-        self.ids = np.concatenate([self.ids, flat])
-        count = self.bytes.encode_ordinary
-        self.byte_counts = np.concatenate([self.byte_counts, np.fromiter((len(count(" " + w)) for w in strings), np.int32, len(strings))])
+        self.ids = np.concatenate([self.ids, np.fromiter((i for x in tokens for i in x), np.int32, int(sizes.sum()))])
 
-    def measure(self, words: list[bytes]) -> tuple[int, int, int, int, float]:
-        """Piece tokens, byte-vocabulary tokens, fallback tokens, symbol tokens and entropy in bits."""
+    def measure(self, words: list[bytes]) -> tuple[int, int, int, int, float | None]:
+        """Pieces, fallback pieces, byte-level tokens, bare ones among them, and the mean entropy of stretches in bits."""
         at = np.fromiter(map(self.index.__getitem__, words), np.int64, len(words))
+        pieces, fell = self.counts[:, at].sum(axis=1).tolist()
         sizes = self.starts[at + 1] - self.starts[at]
         total = int(sizes.sum())
-        if not total:
-            return 0, int(self.byte_counts[at].sum()), 0, 0, 0.0
         ends = np.cumsum(sizes)
         ids = self.ids[np.arange(total) + np.repeat(self.starts[at] - ends + sizes, sizes)]
-        ids.sort()
-        runs = np.diff(np.flatnonzero(np.concatenate([[True], ids[1:] != ids[:-1], [True]]))) / total
-        return total, int(self.byte_counts[at].sum()), int(self.fallback[ids].sum()), int(self.symbol[ids].sum()), float(-(runs * np.log2(runs)).sum()) + 0.0
+        return pieces, fell, total, int(self.byte_fell[ids].sum()), stretch_entropy(ids)
+
+
+def stretch_entropy(ids: np.ndarray) -> float | None:
+    """The mean entropy of stretches of ``STRETCH`` tokens, the last of which may overlap the one before; None for fewer tokens."""
+    whole = len(ids) // STRETCH
+    if not whole:
+        return None
+    rows = ids[: whole * STRETCH].reshape(whole, STRETCH)
+    if len(ids) % STRETCH:
+        rows = np.vstack([rows, ids[-STRETCH:]])
+    rows = np.sort(rows, axis=1)
+    edges = np.hstack([np.ones((len(rows), 1), bool), rows[:, 1:] != rows[:, :-1]])
+    runs = np.diff(np.append(np.flatnonzero(edges.ravel()), rows.size)) / STRETCH
+    return float(-(runs * np.log2(runs)).sum() / len(rows)) + 0.0
 
 
 SCHEMA = (
-    "struct<n_words: bigint, word_chars: bigint, n_symbols: bigint, n_dup_lines: bigint, n_repeat_words: bigint, script: string, "
-    "n_tokens: bigint, chars_per_piece: double, chars_per_byte_token: double, fallback_share: double, symbol_share: double, token_entropy: double, "
-    "base_failed: boolean, reason: string>"
+    "struct<n_words: bigint, word_chars: bigint, n_symbols: bigint, n_dup_lines: bigint, n_repeat_words: bigint, "
+    "script: string, n_tokens: bigint, chars_per_piece: double, chars_per_byte_token: double, piece_fallback: double, "
+    "byte_fallback: double, token_entropy: double, base_failed: boolean>"
 )
+NAMES = [x.split(":")[0].strip() for x in SCHEMA[7:-1].split(",")]
+KINDS = [pa.int64()] * 5 + [pa.string(), pa.int64()] + [pa.float64()] * 5 + [pa.bool_()]
 
 
-def quality(text: Column, rules: FertilityRules | None = None) -> Column:
-    """A struct of the counts, the fertility measures, ``base_failed`` and ``reason`` (null: keep).
+def measures(text: Column, rules: FertilityRules | None = None) -> Column:
+    """A struct of the counts, the fertility measures and ``base_failed``.
 
     A null or empty text has no words, so it fails the base rules; its ratios are null. A text is
-    judged whole, however long. Every row is judged by itself: ties, repeats and skew don't matter.
+    measured whole, however long, and by itself: ties, repeats and skew don't matter.
     """
     rules = rules or FertilityRules()
 
-    def reason(n: int, repeats: int, script: str, pieces: float | None, by_bytes: float | None, fallback: float, symbols: float, tokens: int, entropy: float) -> str | None:
-        band = rules.bands.get(script, rules.bands["other"])
-        if n < rules.min_words or 100 * repeats > rules.max_repeat_percent * n:
-            return "base"
-        if not band.piece_chars[0] <= pieces <= band.piece_chars[1]:
-            return "chars_per_piece"
-        if not band.byte_chars[0] <= by_bytes <= band.byte_chars[1]:
-            return "chars_per_byte_token"
-        if fallback > band.max_fallback:
-            return "fallback_share"
-        if symbols > band.max_symbols:
-            return "symbol_share"
-        if tokens >= rules.entropy_tokens and entropy < band.min_entropy * math.log2(tokens):
-            return "token_entropy"
-        return None
-
     def make():
         fertility = _Fertility(rules)
 
+        def row(text: str, raw: bytes, words: list[bytes]) -> tuple:
+            n, chars = len(words), len(text) - sum(map(text.count, " \t\n\x0b\x0c\r"))
+            symbols, repeats = len(raw) - len(raw.translate(None, SYMBOLS)), repeat_words(words)
+            counts = (n, chars, symbols, duplicate_lines(text), repeats, script_of(text))
+            failed = n < rules.min_words or 100 * repeats > rules.max_repeat_percent * n
+            if not n:
+                return (*counts, 0, None, None, None, None, None, failed)
+            pieces, fell, tokens, bare, entropy = fertility.measure(words)
+            return (*counts, tokens, chars / pieces, chars / tokens, fell / pieces, bare / tokens, entropy, failed)
+
         def work(texts: list) -> pa.Array:
             texts = [t or "" for t in texts]
             raw = [t.encode() for t in texts]
             docs = [b.split() for b in raw]
             fertility.learn(docs)
-            rows = []
-            for t, b, words in zip(texts, raw, docs):
-                n = len(words)
-                chars = len(t) - sum(map(t.count, " \t\n\x0b\x0c\r"))
-                symbols = len(b) - len(b.translate(None, SYMBOLS))
-                repeats, script = repeat_words(words), script_of(t)
-                tokens, byte_tokens, fallback, signs, entropy = fertility.measure(words)
-                per_piece = chars / tokens if tokens else None
-                per_byte = chars / byte_tokens if byte_tokens else None
-                share = fallback / tokens if tokens else None
-                signs = signs / tokens if tokens else None
-                why = reason(n, repeats, script, per_piece or 0.0, per_byte or 0.0, share or 0.0, signs or 0.0, tokens, entropy)
-                rows.append((n, chars, symbols, duplicate_lines(t), repeats, script, tokens, per_piece, per_byte, share, signs, entropy, why == "base", why))
-            kinds = [pa.int64()] * 5 + [pa.string(), pa.int64()] + [pa.float64()] * 5 + [pa.bool_(), pa.string()]
-            names = [x.split(":")[0].strip() for x in SCHEMA[7:-1].split(",")]
-            columns = zip(*rows) if rows else [[] for _ in names]
-            return struct_array({k: (list(v), t) for k, v, t in zip(names, columns, kinds)})
+            columns = list(zip(*map(row, texts, raw, docs))) or [[] for _ in NAMES]
+            return struct_array({k: (list(v), t) for k, v, t in zip(NAMES, columns, KINDS)})
 
         return work
 
     return text_udf(make, SCHEMA)(text)
 
 
-def annotate(docs: DataFrame, text_col: str = "text", rules: FertilityRules | None = None) -> DataFrame:
-    """Counts, measures and verdict of every row beside its id columns' values: (all columns but the text) + measures.
+def fit_bands(measured: DataFrame, language: str | None, rules: FertilityRules | None = None) -> DataFrame:
+    """(band_script, band_language, low, high): arrays of bounds in the order of ``MEASURES``.
 
-    Columns of ``docs`` with a measure's name are left out in favour of the measure.
+    ``measured`` has the struct ``__quality`` and maybe a ``language`` column. Texts that pass the base rules
+    count, one by one and all of them; a row with null ``band_language`` is the script's. Measures are rounded to
+    three digits, so a group's counts of values are few and its quartiles exact, whatever the partitioning.
+    """
+    rules = rules or FertilityRules()
+    lang = F.col(language).cast("string") if language else F.lit(None).cast("string")
+    rows = measured.where(~F.col("__quality.base_failed")).select(
+        F.col("__quality.script").alias("band_script"),
+        lang.alias("band_language"),
+        *[F.round(F.col(f"__quality.{m}"), 3).alias(m) for m in MEASURES],
+    )
+    quartiles = [F.percentile(m, F.array(F.lit(0.25), F.lit(0.75))).alias(m) for m in MEASURES]
+    own = rows.where("band_language is not null").groupBy("band_script", "band_language")
+    script = rows.groupBy("band_script").agg(F.count("*").alias("n"), *quartiles)
+    both = own.agg(F.count("*").alias("n"), *quartiles).unionByName(
+        script.withColumn("band_language", F.lit(None).cast("string"))
+    )
+
+    def bound(m: str, side: int) -> Column:
+        fence = rules.fences[m]
+        reach = F.greatest(rules.reach * (F.col(m)[1] - F.col(m)[0]), F.lit(fence.least))
+        open_side = F.lit(float("inf") if side else float("-inf"))
+        moved = F.col(m)[side] + reach if side else F.col(m)[side] - reach
+        return F.coalesce(moved, open_side) if (fence.above if side else fence.below) else open_side
+
+    low = F.array(*[bound(m, 0) for m in MEASURES])
+    high = F.array(*[bound(m, 1) for m in MEASURES])
+    enough = both.where(F.col("n") >= rules.min_texts)
+    return enough.select("band_script", "band_language", low.alias("low"), high.alias("high"))
+
+
+def judged(docs: DataFrame, keep: list[str], text_col: str, language_col: str, rules: FertilityRules) -> DataFrame:
+    """The columns ``keep`` of ``docs``, the struct ``__quality`` and the string ``__reason`` (null: kept).
+
+    Measures are taken once and written to the shared folder; bands are fitted on them and joined back.
+    """
+    language = language_col if language_col in docs.columns else None
+    extra = [F.col(language).cast("string").alias("__language")] if language else []
+    measured = docs.select(*keep, *extra, measures(F.col(text_col), rules).alias("__quality"))
+    measured = written(measured, "quality-measures")
+    bands = written(fit_bands(measured, "__language" if language else None, rules), "quality-bands")
+    small = (lambda df: F.broadcast(df)) if bands.count() <= BROADCAST_BANDS else (lambda df: df)
+    script = F.col("__quality.script") == F.col("s_script")
+    rows = measured.join(
+        small(bands.where("band_language is null").toDF("s_script", "s_language", "s_low", "s_high")), script, "left"
+    )
+    low, high = F.col("s_low"), F.col("s_high")
+    if language:
+        own = (F.col("__quality.script") == F.col("l_script")) & (F.col("__language") == F.col("l_language"))
+        fitted = small(bands.where("band_language is not null").toDF("l_script", "l_language", "l_low", "l_high"))
+        rows = rows.join(fitted, own, "left")
+        low, high = F.coalesce("l_low", low), F.coalesce("l_high", high)
+    whens = [(k, F.array(*[F.array(F.lit(a), F.lit(z)) for a, z in v])) for k, v in rules.wide.items() if k != "other"]
+    other = F.array(*[F.array(F.lit(a), F.lit(z)) for a, z in rules.wide["other"]])
+    wide = reduce(lambda rest, kv: F.when(F.col("__quality.script") == kv[0], kv[1]).otherwise(rest), whens, other)
+    rows = rows.withColumn("__low", F.coalesce(low, F.transform(wide, lambda b: b[0])))
+    rows = rows.withColumn("__high", F.coalesce(high, F.transform(wide, lambda b: b[1])))
+
+    def outside(i: int, m: str) -> Column:
+        value = F.col(f"__quality.{m}")
+        return F.when((value < F.col("__low")[i]) | (value > F.col("__high")[i]), F.lit(m))
+
+    broken = F.array_join(F.array(*[outside(i, m) for i, m in enumerate(MEASURES)]), ",")
+    reason = F.when(F.col("__quality.base_failed"), "base").when(broken != "", broken)
+    return rows.select(*keep, "__quality", reason.alias("__reason"))
+
+
+def annotate(
+    docs: DataFrame, text_col: str = "text", rules: FertilityRules | None = None, language_col: str = "lang"
+) -> DataFrame:
+    """Every row of ``docs`` without its text, with its counts, measures, ``reason`` and ``kept``.
+
+    ``reason`` is null for kept rows, ``base``, or all measures that are out of their band, joined by commas.
+    Rows without a language, and all rows if there is no ``language_col``, are judged by their script. Repeated rows and
+    null ids are rows like others; columns of ``docs`` with a measure's name are left out in favour of the
+    measure. An empty table gives an empty table.
     """
-    names = [x.split(":")[0].strip() for x in SCHEMA[7:-1].split(",")] + ["kept"]
+    names = [*NAMES, "reason", "kept"]
     keep = [c for c in docs.columns if c != text_col and c not in names]
-    judged = docs.select(*keep, quality(F.col(text_col), rules).alias("__quality"))
-    return judged.select(*keep, *[F.col(f"__quality.{n}").alias(n) for n in names[:-1]], F.col("__quality.reason").isNull().alias("kept"))
+    rows = judged(docs, keep, text_col, language_col, rules or FertilityRules())
+    found = [F.col(f"__quality.{n}").alias(n) for n in NAMES]
+    return rows.select(*keep, *found, F.col("__reason").alias("reason"), F.col("__reason").isNull().alias("kept"))
 
 
-def keep_good(docs: DataFrame, text_col: str = "text", rules: FertilityRules | None = None) -> DataFrame:
-    """The rows of ``docs`` that pass, with all their columns and nothing else."""
-    judged = docs.withColumn("__quality", quality(F.col(text_col), rules))
-    return judged.where(F.col("__quality.reason").isNull()).drop("__quality")
+def keep_good(
+    docs: DataFrame, text_col: str = "text", rules: FertilityRules | None = None, language_col: str = "lang"
+) -> DataFrame:
+    """The rows of ``docs`` that pass, with all their columns and nothing else; odd rows as in ``annotate``."""
+    rows = judged(docs, docs.columns, text_col, language_col, rules or FertilityRules())
+    return rows.where(F.col("__reason").isNull()).select(*docs.columns)

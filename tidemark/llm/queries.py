@@ -16,7 +16,7 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def op1_tokeniser_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base counts, fertility measures and verdict of every document."""
-    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
     return quality.annotate(docs).withColumn("reason", F.coalesce("reason", F.lit("")))
 
 
