@@ -6,12 +6,16 @@ hashed and joined between benchmark items and documents. A re-parameterised ques
 template; it counts as a leak if the slots agree: along one alignment each value of the item stands for one value
 in the document, but for a small share of values (two values may become the same one). Where more values
 conflict but none has been replaced throughout, the text is an edited copy, whose equal windows count.
+
+A window with few literal words says little, so its slots are held to more: names and units must be equal and
+only numbers may change; where even then few words are left, all of it must be equal.
 """
 
 from __future__ import annotations
 
 import re
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -33,8 +37,12 @@ _EDGES = re.compile(r"\A[^\w$€£%°+-]+|[^\w%°]+\Z")
 #: Template tokens kept in a task; beyond it the cache starts anew (results don't change).
 CACHE_WORDS = 300_000
 FILTER_BITS = 24
-#: Added to the seed of windows that are hashed with their values.
-EXACT = 1 << 32
+#: Readings of a window: names, numbers and units as slots; also names that begin sentences; numbers alone; no slots.
+SLOTTED, NAMED, NUMBERS, EXACT = range(4)
+#: Items below this many words match whole lines.
+MIN_WINDOW = 3
+#: Added to the seed of windows read with fewer slots, times the reading.
+SEED = 1 << 32
 
 
 @dataclass(frozen=True)
@@ -84,8 +92,8 @@ class Templates:
             found = zip(*map(self.attribute, new))
             self.arrays = tuple(np.concatenate([a, np.array(x, a.dtype)]) for a, x in zip(self.arrays, found))
 
-    def tokens(self, text: str) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """(words, token hashes, placeholder kinds, hashes of the words themselves, possible names).
+    def tokens(self, text: str) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray, np.ndarray, list[int]]:
+        """(words, token hashes, placeholder kinds, hashes of the words themselves, possible names, lines' first words).
 
         A capitalised word after a sentence's end or a line break is a literal, and a possible name if it isn't a common word.
         """
@@ -99,7 +107,7 @@ class Templates:
         first = np.concatenate([[True], ends[:-1]])
         first[starts] = True
         name = named & ~first
-        return words, np.where(name, NAME_HASH, hashes), np.where(name, 2, kinds), exact, named & first & ~common
+        return words, np.where(name, NAME_HASH, hashes), np.where(name, 2, kinds), exact, named & first & ~common, starts
 
     @staticmethod
     def mixed(hashes: np.ndarray, at: np.ndarray | slice, size: int, n: int, seed: int) -> np.ndarray:
@@ -116,14 +124,22 @@ class Templates:
         low = h & np.uint64((1 << FILTER_BITS) - 1)
         return (self.keep[low >> np.uint64(3)] >> (low & np.uint64(7)).astype(np.uint8)) & 1 == 1
 
-    def windows(self, text: str) -> list[tuple[int, int, list[str], bool, bool]]:
-        """(position, hash, slot values, enough literals, second reading) of the text's windows, only those that the filter lets through.
+    def windows(self, text: str) -> list[tuple[int, int, list[str], bool, int]]:
+        """(position, hash, slot values, enough literals, reading) of the text's windows, only those that the filter lets through.
 
-        A window with too few literal words is hashed with its values, so it matches word for word only. A window
-        with possible names that begin sentences is read twice: with these as literals and with these as names.
+        A window with possible names that begin sentences is read twice: with these as literals and with these as
+        names. One with too few literal words is read with numbers as its only slots if that leaves enough words, else
+        with none. Windows of one or two words are whole lines. Of windows with equal hash and slots the first stands for all.
         """
-        words, hashes, kinds, exact, initial = self.tokens(text)
-        out = []
+        words, hashes, kinds, exact, initial, starts = self.tokens(text)
+        out: dict[tuple, tuple] = {}
+
+        def add(at: np.ndarray, h: np.ndarray, size: int, slotted: np.ndarray, rich: bool, reading: int) -> None:
+            for k in np.flatnonzero(self.passing(h)).tolist():
+                p, value = int(at[k]), int(h[k].view(np.int64))
+                slots = self.slots(words, slotted, p, size)
+                out.setdefault((value, tuple(slots), reading), (p, value, slots, rich, reading))
+
         literal = np.concatenate([[0], np.cumsum(kinds == 0)])
         again = initial.any()
         if again:
@@ -133,21 +149,28 @@ class Templates:
             n = len(words) - size + 1
             if n < 1:
                 continue
-            rich = literal[size:] - literal[:-size] >= min(self.rules.min_literals, size - 1)
-            h = self.mixed(hashes, slice(None), size, n, size)
-            if not rich.all():
-                poor = np.flatnonzero(~rich)
-                h[poor] = self.mixed(exact, poor, size, n, size + EXACT)
-            for p in np.flatnonzero(self.passing(h)).tolist():
-                out.append((p, int(h[p].view(np.int64)), self.slots(words, kinds, p, size), bool(rich[p]), False))
+            none = np.zeros_like(kinds)
+            if size < MIN_WINDOW:
+                lines = np.array(starts)[np.diff([*starts, len(words)]) == size]
+                add(lines, self.mixed(exact, lines, size, n, size + EXACT * SEED), size, none, False, EXACT)
+                continue
+            enough = min(self.rules.min_literals, size - 1)
+            rich = literal[size:] - literal[:-size] >= enough
+            at = np.flatnonzero(rich)
+            add(at, self.mixed(hashes, at, size, n, size), size, kinds, True, SLOTTED)
+            if len(at) < n:
+                numbers = np.where(kinds == 1, kinds, 0)
+                left = size - np.diff(np.concatenate([[0], np.cumsum(numbers)])[[np.arange(n), np.arange(size, size + n)]], axis=0)[0]
+                at = np.flatnonzero(~rich & (left >= enough))
+                h = self.mixed(np.where(kinds == 1, hashes, exact), at, size, n, size + NUMBERS * SEED)
+                add(at, h, size, numbers, True, NUMBERS)
+                at = np.flatnonzero(~rich & (left < enough))
+                add(at, self.mixed(exact, at, size, n, size + EXACT * SEED), size, none, False, EXACT)
             if again:
                 names = opened[size:] - opened[:-size]
-                at = np.flatnonzero((names > 0) & (literal[size:] - literal[:-size] - names >= min(self.rules.min_literals, size - 1)))
-                h = self.mixed(named_hashes, at, size, n, size)
-                for k in np.flatnonzero(self.passing(h)).tolist():
-                    p = int(at[k])
-                    out.append((p, int(h[k].view(np.int64)), self.slots(words, named_kinds, p, size), True, True))
-        return out
+                at = np.flatnonzero((names > 0) & (literal[size:] - literal[:-size] - names >= enough))
+                add(at, self.mixed(named_hashes, at, size, n, size), size, named_kinds, True, NAMED)
+        return list(out.values())
 
     @staticmethod
     def slots(words: list[str], kinds: np.ndarray, p: int, size: int) -> list[str]:
@@ -156,27 +179,24 @@ class Templates:
     def batch(self, texts: list) -> list:
         texts = [t or "" for t in texts]
         self.learn({w for t in texts for w in t.split()})
-        return [[{"pos": p, "hash": h, "slots": s, "rich": r, "named": m} for p, h, s, r, m in self.windows(t)] if t.strip() else [] for t in texts]
+        names = ("pos", "hash", "slots", "rich", "reading")
+        return [[dict(zip(names, w)) for w in self.windows(t)] if t.split() else [] for t in texts]
 
 
-WINDOW = "array<struct<pos: int, hash: bigint, slots: array<string>, rich: boolean, named: boolean>>"
-_ARROW = pa.list_(pa.struct([("pos", pa.int32()), ("hash", pa.int64()), ("slots", pa.list_(pa.string())), ("rich", pa.bool_()), ("named", pa.bool_())]))
+WINDOW = "array<struct<pos: int, hash: bigint, slots: array<string>, rich: boolean, reading: int>>"
+_ARROW = pa.list_(
+    pa.struct([("pos", pa.int32()), ("hash", pa.int64()), ("slots", pa.list_(pa.string())), ("rich", pa.bool_()), ("reading", pa.int32())])
+)
 
 
 def _windows(rows: DataFrame, id_col: str, text_col: str, rules: TemplateRules, sizes: list[int], keep: np.ndarray | None) -> DataFrame:
     def make():
         templates = Templates(rules, sizes, keep)
 
-        def work(texts: list) -> pa.Array:
-            out = []
-            for at in range(0, len(texts), 2000):
-                out += templates.batch(texts[at : at + 2000])
-            return pa.array(out, _ARROW)
-
-        return work
+        return lambda texts: pa.array(templates.batch(texts), _ARROW)
 
     found = rows.select(F.col(id_col).alias(f"{id_col}_"), F.explode(text_udf(make, WINDOW)(F.col(text_col))).alias("w"))
-    return found.select(F.col(f"{id_col}_").alias(id_col), "w.pos", "w.hash", "w.slots", "w.rich", "w.named")
+    return found.select(F.col(f"{id_col}_").alias(id_col), "w.pos", "w.hash", "w.slots", "w.rich", "w.reading")
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, rules: TemplateRules | None = None, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
@@ -184,43 +204,67 @@ def leaks(docs: DataFrame, benchmark: DataFrame, rules: TemplateRules | None = N
 
     Documents are read whole and once. Their windows first pass a bit filter of fixed size (2 MB) built
     from the benchmark's windows, so that what is joined by hash is near the true matches; the join itself
-    is exact and left to Spark (it may broadcast a benchmark below its own size threshold). Items shorter than a
-    window are matched as one window of their own length (three words at least). ``coverage`` is the share of matched windows among all of the item or
-    among those with enough literal words, whichever is greater: the others match word for word only. Null texts and ids of items
-    match nothing; null document ids are kept as one group; repeated rows and items count once. Other
-    columns are not read.
+    is exact and left to Spark (it may broadcast a benchmark below its own size threshold). A window counts once per
+    document and values, and joins once per item however often either repeats it. Items shorter than a
+    window are matched as one window of their own length, items of one or two words where a line of the document is
+    the item. ``coverage`` is the share of matched windows among all of the item or among those that are not
+    matched word for word only, whichever is greater. Null texts and ids of items match nothing; null document ids are
+    kept as one group; repeated rows and items count once. Other columns are not read. An empty table of documents
+    or items gives an empty table.
     """
     rules = rules or TemplateRules()
-    items = benchmark.where(F.col(item_col).isNotNull() & F.col(item_text_col).isNotNull()).select(F.col(item_col).alias("item_id"), F.col(item_text_col).alias("text")).distinct()
-    lengths = items.select(F.size(F.array_remove(F.split("text", r"[ \t-\r]+"), "")).alias("n"))
-    short = [r.n for r in lengths.where(F.col("n").between(3, rules.window - 1)).distinct().collect()]
-    whole = written(_windows(items, "item_id", "text", rules, [rules.window], None).distinct(), "benchmark-windows")
-    for n in short:
-        own = items.where(F.size(F.array_remove(F.split("text", r"[ \t-\r]+"), "")) == n)
-        whole = whole.unionByName(_windows(own, "item_id", "text", rules, [n], None))
+    known = benchmark.where(F.col(item_col).isNotNull() & F.col(item_text_col).isNotNull())
+    items = known.select(F.col(item_col).alias("item_id"), F.col(item_text_col).alias("text")).distinct()
+    size = F.size(F.array_remove(F.split("text", r"[ \t-\r]+"), ""))
+    short = sorted(r.n for r in items.select(size.alias("n")).where(F.col("n").between(1, rules.window - 1)).distinct().collect())
+    parts = [_windows(items, "item_id", "text", rules, [rules.window], None)]
+    parts += [_windows(items.where(size == n), "item_id", "text", rules, [n], None) for n in short]
+    whole = written(reduce(DataFrame.unionByName, parts).distinct(), "benchmark-windows")
     keys = whole.select((F.col("hash").bitwiseAND(F.lit((1 << FILTER_BITS) - 1))).alias("k")).distinct().toPandas()["k"].to_numpy(np.int64)
     keep = np.zeros(1 << FILTER_BITS, np.uint8)
     keep[keys] = 1
     keep = np.packbits(keep, bitorder="little")
-    found = _windows(docs.where(F.col(text_col).isNotNull()), id_col, text_col, rules, [rules.window, *sorted(short)], keep).withColumnRenamed(id_col, "doc_id")
-    ours = whole.select("item_id", F.col("pos").alias("item_pos"), "hash", F.col("slots").alias("item_slots"), F.col("rich").alias("item_rich"), F.col("named").alias("item_named"))
-    hits = written(found.join(ours, "hash").select("doc_id", "item_id", "item_pos", (F.col("pos") - F.col("item_pos")).alias("shift"), F.concat(F.col("named").cast("string"), F.col("item_named").cast("string")).alias("way"), "slots", "item_slots", "item_rich"), "benchmark-hits")
-    pairs = hits.select("doc_id", "item_id", "shift", "way", F.explode(F.arrays_zip("item_slots", "slots")).alias("z")).select("doc_id", "item_id", "shift", "way", F.col("z.item_slots").alias("x"), F.col("z.slots").alias("y")).distinct()
+    texts = docs.where(F.col(text_col).isNotNull())
+    found = _windows(texts, id_col, text_col, rules, [rules.window, *short], keep).withColumnRenamed(id_col, "doc_id")
+    first = F.min(F.struct("pos", "slots")).alias("first")
+    ours = whole.groupBy("item_id", "hash", F.col("reading").alias("item_reading")).agg(first, F.collect_set("pos").alias("at"))
+    shift, way = (F.col("pos") - F.col("first.pos")).alias("shift"), (F.col("reading") * 4 + F.col("item_reading")).alias("way")
+    joined = found.join(ours, "hash").select("doc_id", "item_id", "hash", shift, way, "slots", F.col("first.slots").alias("item_slots"), "at", "rich")
+    hits = written(joined, "benchmark-hits")
     key = ["doc_id", "item_id", "shift", "way"]
+    zipped = hits.select(*key, F.explode(F.arrays_zip("item_slots", "slots")).alias("z"))
+    pairs = zipped.select(*key, F.col("z.item_slots").alias("x"), F.col("z.slots").alias("y")).distinct()
     values = pairs.groupBy(*key, "x").agg((F.count("*") > 1).alias("torn"), F.max(F.col("x") == F.col("y")).alias("kept"))
-    judged = values.groupBy(*key).agg((F.count_if("torn") > rules.max_conflicts * F.count("*")).alias("torn"), F.every("kept").alias("edited")).where("torn")
-    torn = judged.select(*[F.col(c).alias(f"t_{c}") for c in key], "edited")
-    same = F.col("doc_id").eqNullSafe(F.col("t_doc_id")) & (F.col("item_id") == F.col("t_item_id")) & (F.col("shift") == F.col("t_shift")) & (F.col("way") == F.col("t_way"))
-    sound = hits.join(torn, same, "left").where(F.col("edited").isNull() | (F.col("edited") & (F.col("slots") == F.col("item_slots"))))
+    conflicts = F.count_if("torn") > rules.max_conflicts * F.count("*")
+    torn = values.groupBy(*key).agg(conflicts.alias("torn"), F.every("kept").alias("edited")).where("torn")
+    torn = torn.select(*[F.col(c).alias(f"t_{c}") for c in key], "edited")
+    same = F.col("doc_id").eqNullSafe(F.col("t_doc_id"))
+    for c in key[1:]:
+        same = same & (F.col(c) == F.col(f"t_{c}"))
+    equal = F.col("slots") == F.col("item_slots")
+    sound = hits.join(torn, same, "left").where(F.col("edited").isNull() | (F.col("edited") & equal))
+    once = sound.groupBy("doc_id", "item_id", "hash", "at").agg(F.every(~equal).alias("other"), F.max("rich").alias("rich"))
+    places = once.select("doc_id", "item_id", "other", "rich", F.explode("at").alias("item_pos"))
+    rich_places = F.countDistinct(F.when(F.col("rich"), F.col("item_pos"))).alias("rich_matched")
+    matched = places.groupBy("doc_id", "item_id").agg(
+        F.countDistinct("item_pos").alias("matched_windows"), rich_places, F.max("other").alias("reparameterised")
+    )
     own = whole.groupBy("item_id", "pos").agg(F.max("rich").alias("rich"))
     windows = own.groupBy("item_id").agg(F.count("*").alias("item_windows"), F.count_if("rich").alias("rich_windows"))
-    matched = sound.groupBy("doc_id", "item_id").agg(F.countDistinct("item_pos").alias("matched_windows"), F.countDistinct(F.when(F.col("item_rich"), F.col("item_pos"))).alias("rich_matched"), F.max(F.col("slots") != F.col("item_slots")).alias("reparameterised"))
-    share = F.greatest(F.col("matched_windows") / F.col("item_windows"), F.when(F.col("rich_windows") > 0, F.col("rich_matched") / F.col("rich_windows")))
-    out = matched.join(windows, "item_id").withColumn("coverage", share)
-    return out.where(F.col("coverage") >= rules.min_coverage).select(F.col("doc_id").alias(id_col), F.col("item_id").alias(item_col), "matched_windows", "item_windows", "coverage", "reparameterised")
+    rich_share = F.when(F.col("rich_windows") > 0, F.col("rich_matched") / F.col("rich_windows"))
+    share = F.greatest(F.col("matched_windows") / F.col("item_windows"), rich_share)
+    out = matched.join(windows, "item_id").withColumn("coverage", share).where(F.col("coverage") >= rules.min_coverage)
+    ids = [F.col("doc_id").alias(id_col), F.col("item_id").alias(item_col)]
+    return out.select(*ids, "matched_windows", "item_windows", "coverage", "reparameterised")
+
 
+def drop_leaking(docs: DataFrame, benchmark: DataFrame, rules: TemplateRules | None = None, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that hold no leaked item, with all their columns and nothing else.
 
-def drop_leaking(docs: DataFrame, benchmark: DataFrame, rules: TemplateRules | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that hold no leaked item, with all their columns and nothing else."""
-    found = leaks(docs, benchmark, rules, id_col, text_col)
-    return without_ids(docs, written(found.select(F.col(id_col)).where(F.col(id_col).isNotNull()).distinct(), "benchmark-leaking"), id_col)
+    Rows are told apart by a digest of their text, so rows without an id and rows that share one are each judged
+    by their own text. Rows with a null text stay.
+    """
+    texts = docs.select(F.md5(text_col).alias("__digest"), F.col(text_col).alias("__text")).where("__text is not null")
+    found = leaks(texts, benchmark, rules, "__digest", "__text")
+    gone = written(found.select("__digest").distinct(), "benchmark-leaking")
+    return without_ids(docs.withColumn("__key", F.md5(text_col)), gone, "__key").drop("__key")
