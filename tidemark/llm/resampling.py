@@ -16,7 +16,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import ASCII_LOWER, sample_rows, text_udf, written
+from tidemark.llm.common import ASCII_LOWER, SLICE, sample_rows, text_udf, written
 
 #: Word hashes kept in a task; beyond it the cache starts anew (results don't change).
 CACHE_WORDS = 300_000
@@ -24,14 +24,14 @@ CACHE_WORDS = 300_000
 
 @dataclass(frozen=True)
 class ResamplingRules:
-    """Hash buckets, share of rows to keep, seed of the noise, bound on target rows, and how many n-grams'
-    evidence a text may bring at most (a longer text's mean log ratio counts as that many)."""
+    """Hash buckets, share of rows to keep, seed of the noise, bound on target rows, and the length that a text's
+    log ratio is scaled to (None: the log ratio of the whole text; n: its mean times n, so that length doesn't count)."""
 
-    buckets: int = 1 << 14
+    buckets: int = 1 << 16
     keep: float = 0.8
     seed: int = 11
     fit_rows: int = 40_000
-    evidence: int = 200
+    length: int | None = None
     smoothing: float = 0.5
 
 
@@ -69,15 +69,11 @@ def fit(docs: DataFrame, target_ids: DataFrame, rules: ResamplingRules | None =
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         grams, raw, target = HashedGrams(rules.buckets), np.zeros(rules.buckets, np.int64), np.zeros(rules.buckets, np.int64)
         for batch in batches:
-            for text, chosen in zip(*(c.to_pylist() for c in batch.columns)):
-                if text:
-                    n = np.bincount(grams.of(text), minlength=rules.buckets) if len(text) > rules.buckets else None
-                    at = None if n is not None else grams.of(text)
-                    for counts in [raw, target] if chosen else [raw]:
-                        if n is None:
-                            np.add.at(counts, at, 1)
-                        else:
-                            counts += n
+            for at in range(0, batch.num_rows, SLICE):
+                texts, chosen = (c.slice(at, SLICE).to_pylist() for c in batch.columns)
+                for counts, some in ((raw, texts), (target, [t for t, c in zip(texts, chosen) if c])):
+                    if found := [grams.of(t) for t in some if t]:
+                        counts += np.bincount(np.concatenate(found), minlength=rules.buckets)
         used = np.flatnonzero(raw)
         if len(used):
             yield pa.RecordBatch.from_arrays([pa.array(used.astype(np.int32)), pa.array(raw[used]), pa.array(target[used])], ["bucket", "raw", "target"])
@@ -100,13 +96,18 @@ def weigh(docs: DataFrame, ratios: np.ndarray, rules: ResamplingRules | None = N
 
         def weight(text: str | None) -> float | None:
             at = grams.of(text) if text else ()
-            return float(ratios[at].mean()) * min(len(at), rules.evidence) if len(at) else None
+            if not len(at):
+                return None
+            total = float(ratios[at].sum())
+            return total if rules.length is None else total / len(at) * rules.length
 
         return lambda texts: pa.array([weight(t) for t in texts], pa.float64())
 
-    unit = (F.pmod(F.xxhash64(F.col(id_col), F.lit(rules.seed)), F.lit(1 << 52)) + 0.5) / float(1 << 52)
-    weighed = docs.select(F.col(id_col), text_udf(make, "double")(F.col(text_col)).alias("log_weight"))
-    return weighed.withColumn("key", F.col("log_weight") - F.log(-F.log(unit)))
+    own = F.when(F.col(id_col).isNull(), F.xxhash64(F.col(text_col))).otherwise(F.xxhash64(F.col(id_col)))
+    unit = (F.pmod(F.xxhash64(own, F.lit(rules.seed)), F.lit(1 << 52)) + 0.5) / float(1 << 52)
+    noise = (-F.log(-F.log(unit))).alias("noise")
+    weighed = docs.select(F.col(id_col), noise, text_udf(make, "double")(F.col(text_col)).alias("log_weight"))
+    return weighed.select(id_col, "log_weight", (F.col("log_weight") + F.col("noise")).alias("key"))
 
 
 def kth_largest(rows: DataFrame, column: str, k: int, buckets: int = 4096, enough: int = 10_000) -> float:
@@ -138,7 +139,8 @@ def resample(docs: DataFrame, target_ids: DataFrame, rules: ResamplingRules | No
 
     ``selected`` marks the k = round(keep x rows) largest keys; texts without words have no key and are never
     selected. Rows with a key equal to the k-th are all selected, so repeated rows are treated alike. Noise
-    depends on the id and seed alone. Other columns are not read; an empty table gives an empty table.
+    depends on the id and seed alone (without an id on the text and seed). Other columns are not read; an
+    empty table gives an empty table, an empty target gives every text the weights of the smoothing alone.
     """
     rules = rules or ResamplingRules()
     ratios = fit(docs, target_ids, rules, id_col, text_col)
