@@ -169,11 +169,12 @@ def revisits(manifest: DataFrame, min_bytes: int = MIN_REVISIT_BYTES) -> DataFra
 def normalise(folder: str, manifest: DataFrame, to: str) -> None:
     """Rewrite the archives of ``folder`` to ``to``: a gzip member per record and a sidecar index each.
 
-    One task per archive streams it once. The sidecar ``part-NNNNN.warc.gz.idx`` has a JSON line per
+    One task per archive streams it once; as many partitions are asked for as there are archives, because the rows
+    that name the work are too narrow for adaptive execution to see its size. The sidecar ``part-NNNNN.warc.gz.idx`` has a JSON line per
     record with archive, offset, length, page_id and record_type.
     """
     parts = manifest.select("part").distinct().select("part", F.lit(-1).cast("bigint").alias("seq"), F.lit(None).cast("bigint").alias("refers_to"))
-    todo = parts.unionByName(revisits(manifest))
+    todo = parts.unionByName(revisits(manifest)).repartition(parts.count(), "part")
 
     def rewrite(group: pd.DataFrame) -> pd.DataFrame:
         name = f"part-{int(group['part'].iloc[0]):05d}.warc.gz"
@@ -236,7 +237,9 @@ def read_records(index: DataFrame, folder: str) -> DataFrame:
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), schema.types)], schema=schema)
 
-    dealt = index.repartition("archive", (F.col("offset") / STRETCH).cast("bigint")).sortWithinPartitions("archive", "offset")
+    stretch = (F.col("offset") / STRETCH).cast("bigint").alias("stretch")
+    n = max(1, index.select("archive", stretch).distinct().count())
+    dealt = index.repartition(n, "archive", stretch).sortWithinPartitions("archive", "offset")
     return dealt.select("archive", "offset", "length").mapInArrow(read, "page_id bigint, payload_bytes bigint, payload_digest string, record_type string, refers_to bigint")
 
 
