@@ -8,17 +8,34 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import written
 
 
-def _large_star(edges: DataFrame) -> DataFrame:
+#: Hubs at most: nodes with more than a ``HUBS``-th of all edge ends. There can't be more of them.
+HUBS = 1_000
+
+
+def _with_least(edges: DataFrame, least: DataFrame, ends: int) -> DataFrame:
+    """``edges`` (a, b) with the ``m`` of their ``a`` in ``least`` (a, m, n), n being the number of edges of a.
+
+    The edges of hubs are not shuffled: hubs are few by definition (see ``HUBS``) and their rows are broadcast; the
+    edges of all other nodes are merge-joined, none of which has more than a small share of them.
+    """
+    hub = F.col("n") > max(ends / HUBS, 1.0)
+    hubs = F.broadcast(least.where(hub).select("a", "m"))
+    rest = least.where(~hub).select("a", "m").hint("merge")
+    return edges.join(hubs, "a").unionByName(edges.join(hubs, "a", "left_anti").join(rest, "a"))
+
+
+def _large_star(edges: DataFrame, n: int) -> DataFrame:
     """Every larger neighbour of a node is linked to the smallest of the node and its neighbours."""
     both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
-    return both.join(least, "a").where("b > a and b > m").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
+    counted = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"), F.count("*").alias("n"))
+    found = _with_least(both, written(counted, "components-least"), 2 * n)
+    return found.where("b > a and b > m").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     """A node and its smaller neighbours are linked to the smallest of them."""
-    least = edges.groupBy("a").agg(F.min("b").alias("m"))
-    moved = edges.join(least, "a").where("b > m").select(F.col("b").alias("a"), F.col("m").alias("b"))
+    least = written(edges.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("n")), "components-least")
+    moved = _with_least(edges, least, edges.count()).where("b > m").select(F.col("b").alias("a"), F.col("m").alias("b"))
     return moved.unionByName(least.select("a", F.col("m").alias("b"))).distinct()
 
 
@@ -37,7 +54,7 @@ def connected_components(edges: DataFrame) -> DataFrame:
     edges = written(edges.select("a", "b"), "components")
     seen = _digest(edges)
     while seen[0]:
-        edges = written(_small_star(written(_large_star(edges), "components")), "components")
+        edges = written(_small_star(written(_large_star(edges, seen[0]), "components")), "components")
         now = _digest(edges)
         if now == seen:
             break

@@ -20,11 +20,13 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import ASCII_LOWER, struct_array, text_udf, without_ids, written
+from tidemark.llm.common import ASCII_LOWER, BROADCAST_IDS, spread, struct_array, text_udf, written
 from tidemark.llm.components import connected_components
 
 BITS, SEGMENTS, MAX_DISTANCE, SHINGLE, SEED = 64, 2, 2, 3, 42
 SEGMENT_BITS = BITS // SEGMENTS
+#: Fingerprints that a task expands into 64 variants each.
+FINGERPRINTS_A_TASK = 50_000
 
 
 def simhash(text: str | None, shingle: int = SHINGLE) -> int:
@@ -48,13 +50,14 @@ def simhash(text: str | None, shingle: int = SHINGLE) -> int:
     return int(np.packbits(over, bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE) -> DataFrame:
-    """(id, fp): the fingerprint of every row as a signed 64-bit long; nothing is shuffled."""
+def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, *more: str) -> DataFrame:
+    """(id, fp) and the columns ``more``: the fingerprint of every row as a signed 64-bit long; nothing is shuffled."""
 
     def make():
         return lambda texts: struct_array({"fp": (np.array([simhash(t, shingle) for t in texts], np.uint64).view(np.int64), pa.int64())})
 
-    return docs.select(F.col(id_col), text_udf(make, "struct<fp: bigint>")(F.col(text_col)).alias("f")).select(id_col, "f.fp")
+    found = text_udf(make, "struct<fp: bigint>")(F.col(text_col)).alias("f")
+    return docs.select(F.col(id_col), *more, found).select(id_col, "f.fp", *more)
 
 
 def _variants(fps: DataFrame) -> DataFrame:
@@ -73,19 +76,38 @@ def _centres(fps: DataFrame) -> DataFrame:
 
 def fingerprint_links(fps: DataFrame) -> DataFrame:
     """(a, b) with a > b: links among distinct fingerprints whose connected components are those of
-    "two or fewer bits differ". ``fps`` has one column ``fp`` without repeats.
+    "two or fewer bits differ". ``fps`` (a written table) has one column ``fp`` without repeats.
 
-    Both reads of the variants share one exchange: nearly every variant is unique, so a map-side
-    combine would not shrink it.
+    Fingerprints are dealt by number before they are expanded. Variants are counted with a map-side combine, so
+    one that many fingerprints share isn't gathered; those that share a crowded one are found by a merge join, whose
+    large side adaptive execution splits where a variant is hot. Nothing here is broadcast.
     """
-    variants = _variants(fps).repartition("key")
-    shared = variants.groupBy("key").agg(F.count("*").alias("n"), F.min("fp").alias("b"), F.max("fp").alias("a")).where("n > 1")
-    pairs = shared.where("n = 2").where(F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= MAX_DISTANCE).select("a", "b")
-    crowded = variants.join(shared.where("n > 2").select("key"), "key", "left_semi").select("fp").distinct()
-    centres = _centres(written(crowded, "simhash-crowded"))
-    least = centres.groupBy("centre").agg(F.min("fp").alias("b"), F.count("*").alias("n")).where("n > 1").select("centre", "b")
-    stars = centres.join(least, "centre").where("fp > b").select(F.col("fp").alias("a"), "b")
-    return pairs.unionByName(stars).distinct()
+    variants = _variants(spread(fps, FINGERPRINTS_A_TASK))
+    counted = variants.groupBy("key").agg(F.count("*").alias("n"), F.min("fp").alias("b"), F.max("fp").alias("a"))
+    shared = written(counted.where("n > 1"), "simhash-shared")
+    near = F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= MAX_DISTANCE
+    pairs = shared.where("n = 2").where(near).select("a", "b")
+    keys = shared.where("n > 2").select("key")
+    if keys.isEmpty():
+        return pairs.distinct()
+    crowded = written(variants.join(keys.hint("merge"), "key", "left_semi").select("fp").distinct(), "simhash-crowded")
+    centres = _centres(spread(crowded, FINGERPRINTS_A_TASK))
+    least = centres.groupBy("centre").agg(F.min("fp").alias("b"), F.count("*").alias("n")).where("n > 1")
+    stars = centres.join(least.select("centre", "b").hint("merge"), "centre").where("fp > b")
+    return pairs.unionByName(stars.select(F.col("fp").alias("a"), "b")).distinct()
+
+
+def _classes(docs: DataFrame, id_col: str, text_col: str, shingle: int) -> DataFrame:
+    """(id, text_hash, fp, component_id) of every row of ``docs``."""
+    prints = fingerprints(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("text_hash")), "id", "text", shingle, "text_hash")
+    rows = written(prints, "simhash-rows")
+    distinct = written(rows.groupBy("fp").agg(F.min("id").alias("least")), "simhash-distinct")
+    roots = connected_components(fingerprint_links(distinct.select("fp"))).hint("merge")
+    root = F.coalesce("root", "fp").alias("root")
+    linked = written(distinct.join(roots, distinct.fp == roots.node, "left").select("fp", "least", root), "simhash-linked")
+    smallest = linked.groupBy("root").agg(F.min("least").alias("component_id"))
+    classes = written(linked.join(smallest.hint("merge"), "root").select("fp", "component_id", "root"), "simhash-classes")
+    return rows.join(classes.hint("merge"), "fp")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE) -> DataFrame:
@@ -99,34 +121,40 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     Work is done on distinct fingerprints, so a group of copies of any size counts once.
     """
-    rows = written(fingerprints(docs, id_col, text_col, shingle).toDF("id", "fp"), "simhash-rows")
-    distinct = rows.groupBy("fp").agg(F.min("id").alias("least"))
-    roots = connected_components(fingerprint_links(rows.select("fp").distinct()))
-    linked = distinct.join(roots, distinct.fp == roots.node, "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
-    smallest = linked.groupBy("root").agg(F.min("least").alias("component_id"))
-    classes = linked.join(smallest, "root").select("fp", "component_id")
-    return rows.join(written(classes, "simhash-classes"), "fp").select(
-        F.col("id").alias(id_col), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"
-    )
+    fingerprint = F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint")
+    return _classes(docs, id_col, text_col, shingle).select(F.col("id").alias(id_col), fingerprint, "component_id")
 
 
 def keep_representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE) -> DataFrame:
-    """``docs`` with one row of each component: the row whose id is the component's smallest.
+    """``docs`` with one row of each component (see ``keep_one``), every column as it is."""
+    classes = _classes(docs, id_col, text_col, shingle).select("id", "text_hash", F.col("root").alias("component"))
+    return keep_one(docs, classes, id_col, text_col)
 
-    Every column of ``docs`` is kept as it is. Of several rows with that smallest id one stays. Rows
-    with a null id cannot be told apart by id, so all of them stay.
-    """
-    return keep_least(docs, near_duplicates(docs, id_col, text_col, shingle).select(id_col, "component_id"), id_col)
 
+def keep_one(docs: DataFrame, classes: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``docs`` with one row of each component of ``classes`` (id, text_hash, component; a row for every row of ``docs``).
 
-def keep_least(docs: DataFrame, classes: DataFrame, id_col: str) -> DataFrame:
-    """``docs`` with one row of each component of ``classes`` (id, component_id), as ``keep_representatives`` describes."""
-    key = "__simhash_id"
-    found = written(classes.toDF(key, "__component").where(F.col(key).isNotNull()), "simhash-found")
-    gone = written(found.where(F.col(key) != F.col("__component")).select(key).distinct(), "simhash-gone")
-    kept = without_ids(docs, gone, id_col)
-    repeats = written(found.groupBy(key).count().where("count > 1").select(key), "simhash-repeats")
-    if repeats.isEmpty():
+    The row with the smallest id stays (null ids last; of equal ids that with the smallest hash of its text; of
+    rows equal in both any one, chosen by the values of all columns). Only ids and hashes are gathered; the rows to go
+    are joined back by both, those that must be thinned out are few columns wide until then.
+    """
+    classes = written(classes, "copies-members")
+    order = F.struct(F.col("id").isNull(), "id", "text_hash")
+    best = classes.groupBy("component").agg(F.min(order).alias("best"), F.count("*").alias("n"))
+    joined = classes.join(best.where("n > 1").hint("merge"), "component").select("id", "text_hash", (order == F.col("best")).alias("stays"))
+    counted = written(joined.groupBy("id", "text_hash").agg(F.max("stays").alias("stays"), F.count("*").alias("n")), "copies-counted")
+    gone = counted.where("not stays").select(F.col("id").alias("__id"), F.col("text_hash").alias("__hash"))
+    again = counted.where("stays and n > 1").select(F.col("id").alias("__id"), F.col("text_hash").alias("__hash"))
+    same = docs[id_col].eqNullSafe(F.col("__id")) & (F.xxhash64(docs[text_col]) == F.col("__hash"))
+
+    def listed(ids: DataFrame) -> DataFrame:
+        return F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids.hint("merge")
+
+    kept = docs.join(listed(gone), same, "left_anti")
+    if again.isEmpty():
         return kept
-    again = kept.join(repeats, kept[id_col] == repeats[key], "left_semi").dropDuplicates([id_col])
-    return without_ids(kept, repeats, id_col).unionByName(again)
+    repeats = kept.join(listed(again), same, "left_semi")
+    row = F.struct(*[F.col(c) for c in docs.columns])
+    one = repeats.groupBy(F.col(id_col).alias("__id"), F.xxhash64(text_col).alias("__hash"))
+    thinned = one.agg(F.min_by(row, F.to_json(row)).alias("__row")).select("__row.*")
+    return kept.join(listed(again), same, "left_anti").unionByName(thinned)
