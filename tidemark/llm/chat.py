@@ -72,10 +72,15 @@ def parse(formatted: Column) -> Column:
 
 
 def conflict_free(role: Column, text: Column) -> Column:
-    """``text`` if its rendered turn reparses to (role, text), else its escaped form."""
-    got = parse(render_turn(role, text))
-    same = (F.size(got) == 1) & got[0]["role"].eqNullSafe(role) & got[0]["text"].eqNullSafe(text)
-    return F.when(same, text).otherwise(escape(text))
+    """The first of ``text`` and its escaped form whose rendered turn reparses to (role, text); an error if neither does."""
+
+    def same(body: Column) -> Column:
+        got = parse(render_turn(role, body))
+        return (F.size(got) == 1) & got[0]["role"].eqNullSafe(role) & got[0]["text"].eqNullSafe(text)
+
+    escaped = escape(text)
+    failed = F.raise_error(F.lit("a turn does not reparse to its source")).cast("string")
+    return F.when(same(text), text).when(same(escaped), escaped).otherwise(failed)
 
 
 def format_conversations(conversations: DataFrame) -> DataFrame:
