@@ -11,7 +11,39 @@ def found(spark, docs, items):
 def test_items_with_few_literal_words(spark):
     items = ["What is 15 % of 80 ?", "Convert 5 km to m.", "A 5 km run takes 30 minutes at 10 km / h"]
     docs = [*[f"Some words before it. {x} And some after it." for x in items], "Some words. What is 20 % of 80 ? And Convert 6 km to m. too"]
-    assert found(spark, docs, items) == {(0, 0), (1, 1), (2, 2)}
+    docs += ["Some words. What is 20 $ of 80 ? And Convert 6 kg to g. too", "we convert 5 km to 7 m and more"]
+    assert found(spark, docs, items) == {(0, 0), (1, 1), (2, 2), (3, 0), (3, 1)}
+
+
+def test_number_heavy_items(spark):
+    items = ["What is 12 km plus 30 km plus 45 km minus 7 km in m", "3 5 8 13 21 34 55 89 144"]
+    docs = [f"so {items[0]} then", f"so {items[1]} then", items[0].replace("30", "31").replace("45", "77"), "3 5 8 13 22 34 55 90 144", items[0].replace("km", "mi")]
+    assert found(spark, docs, items) == {(0, 0), (1, 1), (2, 0)}
+
+
+def test_items_of_one_or_two_words(spark):
+    items = ["Grumblefool", "The river"]
+    docs = ["before\ngrumblefool!\nafter", "a grumblefool in a line", "The river", "over\n  the  river \nand", "the river sings", "River the"]
+    assert found(spark, docs, items) == {(0, 0), (2, 1), (3, 1)}
+
+
+def test_repeated_windows_stay_linear(spark):
+    """A text of one repeated sentence against an item of the same: one row per window, not per pair of places."""
+    line = "please pay 5 dollars to the man at the door now "
+    rules = decontamination.TemplateRules()
+    templates = decontamination.Templates(rules, [rules.window])
+    long = line * 3000
+    templates.learn(set(long.split()))
+    assert len(templates.windows(long)) <= len(line.split()) * 2
+    assert found(spark, [long, line * 2, "nothing of it here at all in this text"], [line * 4]) == {(0, 0), (1, 0)}
+
+
+def test_texts_are_judged_row_by_row(spark):
+    item = "the quiet river walks over green stones before the morning light comes again"
+    rows = [(None, f"x {item} y"), (None, "clean text"), (7, f"y {item}"), (7, "another clean text"), (8, None), (9, "")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    kept = decontamination.drop_leaking(docs, spark.createDataFrame([(1, item)], "item_id bigint, text string"))
+    assert sorted((r.doc_id or 0, r.text or "") for r in kept.collect()) == [(0, "clean text"), (7, "another clean text"), (8, ""), (9, "")]
 
 
 def test_names_that_begin_sentences(spark):

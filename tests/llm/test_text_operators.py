@@ -43,12 +43,44 @@ def test_quality_counts_and_verdicts(docs, empty):
     assert kept.columns == docs.columns
 
 
-def test_quality_bands(spark):
-    clean = " ".join(f"{w}{i % 7}" if i % 50 == 0 else w for i, w in enumerate(prose(9, 300, [f"{a}{b}" for a in ("green", "river", "stone", "light", "walk") for b in ("s", "ing", "ed", "er", "ly", "ness", "ful", "able")]).split()))
-    junk = " ".join(w + "%%%" for w in clean.split())
-    rows = {r.doc_id: r for r in quality.annotate(spark.createDataFrame([(1, clean), (2, junk)], "doc_id bigint, text string")).collect()}
-    assert rows[1].kept and rows[1].reason is None
-    assert not rows[2].kept and rows[2].reason == "symbol_share"
+STEMS = ("green", "river", "stone", "light", "walk", "cloud", "winter", "harbour", "garden", "morning")
+WORDS = [f"{a}{b}" for a in STEMS for b in ("s", "ing", "ed", "er", "ly", "ness", "ful", "able", "", "ish")]
+
+
+def test_quality_bands_reject_by_each_measure(spark):
+    """300 plain texts in each of two languages fit the bands; each kind of junk leaves the band of its measure."""
+    foreign = [w[::-1] for w in WORDS]
+    rows = [(i, "en", prose(i, 120 + i % 80, WORDS)) for i in range(300)]
+    rows += [(1000 + i, "xx", prose(i, 120 + i % 80, foreign)) for i in range(300)]
+    r = random.Random(1)
+    letters = lambda n: "".join(r.choice("qxzjkvw") for _ in range(n))
+    junk = {
+        2000: ("en", " ".join(letters(7) for _ in range(120)), "chars_per_piece"),
+        2001: ("en", " ".join("internationalization" + w for w in prose(1, 100, WORDS).split()), "chars_per_byte_token"),
+        2002: ("en", " ".join(w + " \u16a0\u16b1" if i % 3 == 0 else w for i, w in enumerate(prose(2, 150, WORDS).split())), "piece_fallback"),
+        2003: ("en", " ".join(w if i % 2 else "|" for i, w in enumerate(prose(3, 300, WORDS).split())), "byte_fallback"),
+        2004: ("en", " ".join(f"{a} {b} {c} again" for i, (a, b, c) in enumerate(zip(*[iter(prose(4, 150, WORDS[:4]).split())] * 3))), "token_entropy"),
+        2005: ("xx", prose(5, 150, WORDS), "chars_per_piece"),
+        2006: ("en", prose(6, 150, foreign), "chars_per_piece"),
+    }
+    table = spark.createDataFrame([*rows, *[(i, lang, t) for i, (lang, t, _) in junk.items()]], "doc_id bigint, lang string, text string")
+    rules = quality.FertilityRules(max_repeat_percent=100)
+    got = {x.doc_id: x for x in quality.annotate(table, rules=rules).collect()}
+    assert sum(got[i].kept for i, _, _ in rows) >= 0.98 * len(rows)
+    for i, (_, _, measure) in junk.items():
+        assert measure in (got[i].reason or "").split(","), (i, got[i])
+    kept = {x.doc_id for x in quality.keep_good(table, rules=rules).collect()}
+    assert kept == {i for i, x in got.items() if x.kept}
+    again = {x.doc_id: x.reason for x in quality.annotate(table.repartition(11), rules=rules).collect()}
+    assert again == {i: x.reason for i, x in got.items()}
+
+
+def test_stretch_entropy():
+    assert quality.stretch_entropy(np.arange(99)) is None
+    assert quality.stretch_entropy(np.arange(100)) == pytest.approx(np.log2(100))
+    assert quality.stretch_entropy(np.zeros(250, int)) == 0
+    want = (np.log2(100) + 0 + (1 - 0) * 0) / 1
+    assert quality.stretch_entropy(np.concatenate([np.arange(100), np.zeros(100, int)])) == pytest.approx(want / 2)
 
 
 def test_scripts():
@@ -58,23 +90,33 @@ def test_scripts():
     assert quality.script_of("123 !") == "none"
 
 
-def test_encoder_equals_library():
-    encoder = token_store.Encoder(token_store.Tokenizer())
+def untouched():
+    """The library's own reading of the tokenizer file."""
+    import tokenizers
+
+    return tokenizers.Tokenizer.from_file(path("byte_bpe_50k.json"))
+
+
+@pytest.mark.parametrize("special_as_text", [False, True])
+def test_encoder_equals_library(special_as_text):
+    encoder, library = token_store.Encoder(token_store.Tokenizer(special_as_text=special_as_text)), untouched()
+    library.encode_special_tokens = special_as_text
     r = random.Random(5)
-    alphabet = list("ab c\n\t.,'s 12é漢 \x1c\x00<|>")
-    for _ in range(2000):
-        text = "".join(r.choice(alphabet) for _ in range(r.randint(0, 14)))
-        ids = encoder.library.encode(text, add_special_tokens=False).ids + [2]
-        assert encoder.encode(text) == np.array(ids, "<u4").tobytes()
+    alphabet = [*"ab c\n\t.,'s 12é漢 \x1c\x00<|>", "<|endoftext|>", " <|endoftext|>", "endoftext"]
+    texts = ["hi <|endoftext|> yo", "<|endoftext|>", "x<|endoftext|>"]
+    for text in [*texts, *("".join(r.choice(alphabet) for _ in range(r.randint(0, 14))) for _ in range(3000))]:
+        ids = library.encode(text, add_special_tokens=False).ids + [2]
+        assert encoder.encode(text) == np.array(ids, "<u4").tobytes(), text
+    assert untouched().encode(texts[0], add_special_tokens=False).ids == [5303, 220, 50256, 27406]
 
 
 @pytest.mark.parametrize("encoding", ["dictionary", "delta"])
 def test_token_store(spark, docs, empty, encoding):
     fmt = token_store.TokenFormat(encoding=encoding, page_rows=5)
-    got = token_store.store_and_check(docs.where("doc_id is not null"), fmt=fmt).orderBy("start").collect()
-    library = token_store.Encoder(token_store.Tokenizer()).library
-    start = 0
-    for r, want in zip(got, docs.where("doc_id is not null").orderBy("doc_id", "text").collect()):
+    got = token_store.store_and_check(docs, fmt=fmt).orderBy("start").collect()
+    library, start = untouched(), 0
+    assert len(got) == docs.count() and got[0].doc_id is None
+    for r, want in zip(got, docs.orderBy("doc_id", "text").collect()):
         ids = library.encode(want.text or "", add_special_tokens=False).ids + [2]
         assert (r.doc_id, r.start, r.n_tokens) == (want.doc_id, start, len(ids))
         assert r.ids_crc32 == zlib.crc32(struct.pack(f"<{len(ids)}I", *ids))
@@ -176,8 +218,20 @@ def test_language_identification(spark, docs, empty):
     assert all(got[i].lang_pred == lang for i, _, lang in rows)
     assert got[900].lang_pred == got[901].lang_pred == "und" and got[902].lang_pred == "aa"
     assert all(0 <= r.score <= 1 and r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 3 == 1) for r in got.values())
-    assert {r.lang_pred for r in language_id.identify(docs).where("doc_id in (4, 5, 6)").collect()} == {"und"}
+    odd = language_id.identify(docs.withColumn("lang_pred", F.lit("clash")).withColumn("score", F.lit("clash"))).collect()
+    assert len(odd) == docs.count() and {r.lang_pred for r in odd if r.doc_id in (4, 5, 6)} == {"und"}
+    assert len({(r.lang_pred, r.score) for r in odd if r.doc_id == 11}) == 1
     assert language_id.identify(empty).count() == 0
+    unknown = language_id.identify(table.withColumn("lang", F.lit(None).cast("string"))).collect()
+    assert {(r.lang_pred, r.score) for r in unknown} == {("und", 0.0)}
+
+
+def test_equal_cosines_take_the_first_language(spark):
+    text = prose(1, 40)
+    table = spark.createDataFrame([(i, text, lang) for i, lang in enumerate(["zz", "aa", "mm"] * 20)], "doc_id bigint, text string, lang string")
+    langs, prototypes = language_id.fit(table)
+    prototypes[:] = prototypes[0]
+    assert {r.lang_pred for r in language_id.predict(table, (langs, prototypes)).collect()} == {"aa"}
 
 
 def test_bundle_is_the_definition():
@@ -218,12 +272,73 @@ def test_deobfuscation(toxic_model):
     docs, labels = toxic_model
     model = toxicity.fit(docs, labels)
     scorer = toxicity.Scorer(model)
-    for noisy in ("gruMbl3f00l", "snotw0rmmmm", "s-n-o-t-w-o-r-m", "s n o t w o r m", "5n0tw0rm!", "grumblef*ol"):
-        assert scorer.features(noisy)[0] > 0, noisy
-    for clean in ("2024", "well-known", "mississippi", "e.g.", "a b c d"):
+    for noisy in NOISY:
+        assert scorer.features(f"the river {noisy} walks")[0] > 0, noisy
+    for clean in ("2024", "well-known", "mississippi", "e.g.", "a b c d", "sn ow ro", "to be or no"):
         assert scorer.features(clean)[0] == 0, clean
 
 
+NOISY = (
+    "gruMbl3f00l", "snotw0rmmmm", "s-n-o-t-w-o-r-m", "s n o t w o r m", "5n0tw0rm!", "grumblef*ol", "sn ot wo rm",
+    "s  n\to\nt w o r m", "a s n o t w o r m", "$n0tw0rm", "gr|umbl3fool", "ssssnotworm1",
+)
+
+
+#: Disguised from the first letters on, so that no beginning of a lexicon word shows.
+HIDDEN = ("s-n-o-t-w-o-r-m", "s n o t w o r m", "5n0tw0rm!", "sn ot wo rm", "$n0tw0rm", "6rumb1ef00l", "gr|umbl3fool", "s.n.o.t.w.0.r.m")
+
+
+def test_restoration_alone_decides(spark, toxic_model):
+    """Texts whose only toxic words are disguised: caught with restoration, none without, and no clean text is hit."""
+    docs, labels = toxic_model
+    rows = []
+    for i in range(240):
+        words = prose(5000 + i, 40).split()
+        if i % 2:
+            words[5:5] = [HIDDEN[i // 2 % len(HIDDEN)]]
+            words[25:25] = [HIDDEN[i // 2 * 3 % len(HIDDEN)]]
+        rows.append((i, " ".join(words)))
+    planted = spark.createDataFrame(rows, "doc_id bigint, text string")
+    caught = {}
+    for restoration in (True, False):
+        model = toxicity.fit(docs, labels, toxicity.ToxicityRules(restoration=restoration))
+        got = planted.select("doc_id", toxicity.score(F.col("text"), model).alias("s")).collect()
+        assert not [r for r in got if r.doc_id % 2 == 0 and r.s >= 0.7]
+        caught[restoration] = sum(r.s >= 0.7 for r in got if r.doc_id % 2) / 120
+    print("restored", caught)
+    assert caught[True] >= 0.95 and caught[False] == 0
+
+
+def test_more_evidence_never_lowers_the_score(toxic_model):
+    docs, labels = toxic_model
+    model = toxicity.fit(docs, labels)
+    assert all(w >= 0 for w in model.calibration[1:])
+    base, scorer = prose(1, 60).split(), toxicity.Scorer(model)
+    before = scorer.features(" ".join(base))
+    for k in range(1, 6):
+        after = scorer.features(" ".join(base + [TOXIC[j % 2] for j in range(k)]))
+        assert all(a >= b for a, b in zip(after, before))
+        before = after
+
+
+def test_contradicting_labels_are_toxic(spark, toxic_model):
+    docs, labels = toxic_model
+    doubled = labels.unionByName(labels.where("toxic = 1").withColumn("toxic", F.lit(0)))
+    a, b = toxicity.fit(docs, labels), toxicity.fit(docs, doubled.repartition(9))
+    assert a.lexicon == b.lexicon and a.calibration == pytest.approx(b.calibration)
+
+
+def test_trigrams_are_the_definition():
+    counter = toxicity.TrigramCounter()
+    counter.add(["Ab, ab\nx", None or "漢字abc d1e"])
+    want = Counter()
+    for word in ("ab", "ab", "x", "\u2e80\u2e80abc"):
+        padded = f"^^{word}$"
+        want.update(padded[i : i + 3] for i in range(len(padded) - 2))
+    want.update(["^^d", "^^d"][:0])
+    assert counter.grams() == want
+
+
 def test_viterbi_restores_the_best_path(toxic_model):
     docs, labels = toxic_model
     model = toxicity.fit(docs, labels)
@@ -233,13 +348,14 @@ def test_viterbi_restores_the_best_path(toxic_model):
     def total(text, cost):
         padded = f"^^{text}$"
         return sum(model.trigrams.get(padded[i : i + 3], model.floor) for i in range(len(padded) - 2)) - cost
+
     best = max(paths, key=lambda p: total(*p))[0]
     assert toxicity.restore("sn0tw0rm", model) == best == "snotworm"
 
 
 def test_toxicity_edges(spark, docs, empty, toxic_model):
     labels = toxic_model[1]
-    got = toxicity.classify(docs, labels).collect()
+    got = toxicity.classify(docs.withColumn("predicted", F.lit("clash")), labels).collect()
     assert len(got) == docs.count() and all(0 <= r.score <= 1 for r in got)
     none = spark.createDataFrame([], "doc_id bigint, toxic int")
     assert all(r.predicted == 0 for r in toxicity.classify(docs, none).collect())
