@@ -8,8 +8,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.datasets import OBSERVED, dataset
-from tidemark.functions import instants
-from tidemark.operators import append, incremental, metrics, panel, pit, spans, valuation
+from tidemark.functions import instants, scalar
+from tidemark.operators import append, incremental, metrics, panel, pit, spans, validate, valuation
 from tidemark.sources import payloads, tables
 
 D, T = dt.date, dt.datetime
@@ -235,8 +235,56 @@ def test_html_and_subjects(spark):
     page = spark.createDataFrame([(1, "<table><tr><th>h</th></tr><tr><td>a<br>b</td><td>1&amp;2</td></tr><tr><td>x</td></tr></table>")], "page_id int, html string")
     got = payloads.html_table_rows(page, "page_id", cells=2).orderBy("row_no").collect()
     assert [(r.cells, r.violation) for r in got] == [(["a\nb", "1&2"], None), (["x"], "cell_count")]
-    s = spark.createDataFrame([("change of class",), ("rules",), ("other",)], "s string")
-    assert [r[0] for r in s.select(payloads.subject_class(F.col("s"), "change", "rules")).collect()] == ["change", "regulation", "out_of_scope"]
+    odd = spark.createDataFrame([(1, "<tr><td>&#12288;x&#x4E2D;</td><td></td></tr><tr></tr>")], "page_id int, html string")
+    assert [r.cells for r in payloads.html_table_rows(odd, "page_id").orderBy("row_no").collect()] == [["x中", ""], []]
+    texts = ["&#12288;a&mdash;b&nbsp;", "x &amp;lt; &copy y", "<p>one</p>two<br/>", None, "plain"]
+    got = spark.createDataFrame([(t,) for t in texts], "t string").select(scalar.html_text(F.col("t"))).collect()
+    assert [r[0] for r in got] == ["a—b", "x &lt; © y", "one\ntwo", None, "plain"]
+    subjects = {"修正要點": "regulation", "興櫃公司": "out_of_scope", "上櫃及興櫃": "change", "創櫃板": "out_of_scope", "上（興）櫃": "change", "產業類別": "change"}
+    s = spark.createDataFrame([(t,) for t in subjects], "s string")
+    assert [r[0] for r in s.select(payloads.subject_class(F.col("s"))).collect()] == list(subjects.values())
+
+
+def test_amounts(spark):
+    cases = {
+        ("12.5", None, -2): (0.125, False), ("(1,234)", None, 3): (-1234000.0, False), ("5", "-", None): (-5.0, False),
+        ("(5)", "-", None): (None, True), ("(5)", "+", None): (None, True), ("5", "+", 0): (None, True), ("-", None, None): (None, False),
+        ("n/a", "+", None): (None, False), ("see note", None, 1): (None, False), ("a long narrative", None, 1): (None, True),
+        ("NaN", None, None): (None, True), ("Infinity", None, None): (None, True), ("1 000", None, 0): (1000.0, False), ("0.000001", None, -6): (1e-12, False),
+    }
+    rows = spark.createDataFrame(list(cases), "t string, s string, p int")
+    got = rows.select(scalar.accounting_amount(F.col("t"), F.col("s"), F.col("p")).alias("a")).select("a.*").collect()
+    assert [(None if r.value is None else float(r.value), r.bad) for r in got] == list(cases.values())
+
+
+def test_truncation_is_judged_by_file(spark):
+    rows = [("f1", c, i, lv) for i, c in enumerate("ab") for lv in range(1, 18) if not (c == "b" and lv > 9)]
+    rows += [("f2", c, i, lv) for i, c in enumerate("xyz") for lv in range(1, 18) if not (c == "y" and lv == 3)]
+    levels = spark.createDataFrame([(f, c, i, lv, 1, 1, 5.0) for f, c, i, lv in rows], "file string, code string, at int, level int, holders int, shares int, percent double")
+    got = {r.code: (r.violation, r.truncated) for r in validate.level_completeness(levels, ["file", "code"], "at", file=["file"]).collect()}
+    assert got == {"a": (None, True), "b": ("missing_level", True), "x": (None, False), "y": ("missing_level", False), "z": (None, False)}
+
+
+def test_lineage_to_the_microsecond(spark):
+    import hashlib
+
+    at = [T(2024, 1, 2, 20), T(2024, 1, 3, 20, 0, 0, 800000), T(2024, 1, 4, 20, 0, 0, 1)]
+    v = versions(spark, [(d, r, 1) for d, r in zip((2, 3, 4), at)])
+    got = pit.with_lineage(v, SERIES, "trade_date").orderBy("trade_date").collect()
+    for n, r in enumerate(got, 1):
+        text = ",".join(f"{D(2024, 1, d)}@{t.isoformat()}+00:00" for d, t in list(zip((2, 3, 4), at))[:n])
+        assert (r.input_count, r.input_fingerprint) == (n, hashlib.sha256(text.encode()).hexdigest())
+    assert set(got[0].asDict()) == {*v.columns, "input_count", "input_fingerprint"}
+
+
+def test_announcements(spark):
+    text = "公告：代號8000由「K」改為「L」\n一、某公司（代號：1234A）由「甲」調整為「乙」，實施日期：109年2月1日\n二、興櫃公司：\n代號9999由「A」改為「B」\n三、9998 由 A 改為 B"
+    two = "自109年2月1日起實施，實施日期：109年3月1日，代號 12349B 由「甲」改為「乙」"
+    whole = "興櫃公司 代號1111由「A」改為「B」實施日期：109年2月1日"
+    notices = spark.createDataFrame([(1, text), (2, two), (3, whole), (4, None)], "n int, text string")
+    got = sorted((r.n, r.stock_id, r.old_industry, r.new_industry, r.effective_date, r.violation) for r in payloads.announcement_changes(notices, "n").collect())
+    assert got == [(1, "1234A", "甲", "乙", D(2020, 2, 1), None), (1, "8000", "K", "L", D(2020, 2, 1), None), (2, "12349B", "甲", "乙", None, "effective_date_not_unique")]
+    assert payloads.announcement_changes(notices, "n", scoped=False).count() == 5
 
 
 def test_append_stream(spark, tmp_path):
@@ -250,3 +298,28 @@ def test_append_stream(spark, tmp_path):
         append_changed_stream(stream, out, f"{tmp_path}/chk", ["k"], ["v"]).awaitTermination()
     got = spark.read.schema(schema).option("recursiveFileLookup", "true").parquet(out)
     assert [r.v for r in got.orderBy("recorded_at").collect()] == [1, 2, 1]
+
+
+def test_append_stream_replays_a_batch(spark, tmp_path):
+    """A batch whose commit is lost is run again: nothing is lost or repeated. A new checkpoint can't overwrite batches."""
+    from tidemark.streaming.append import append_changed_stream
+
+    schema = "k string, recorded_at timestamp_ntz, v int"
+    src, out, chk = f"{tmp_path}/in", f"{tmp_path}/out", tmp_path / "chk"
+    for key, v, day in [("x", 1, 1), ("y", 5, 2)]:
+        spark.createDataFrame([(key, T(2024, 1, day), v)], schema).coalesce(1).write.mode("append").parquet(src)
+        append_changed_stream(spark.readStream.schema(schema).parquet(src), out, str(chk), ["k"], ["v"]).awaitTermination()
+    read = lambda path: sorted((r.k, r.v) for r in spark.read.schema(schema).parquet(path).collect())
+    assert read(out) == [("x", 1), ("y", 5)]
+    for batch in (1, 0):
+        for name in (f"{batch}", f".{batch}.crc"):
+            if (chk / "commits" / name).exists():
+                (chk / "commits" / name).unlink()
+        append_changed_stream(spark.readStream.schema(schema).parquet(src), out, str(chk), ["k"], ["v"]).awaitTermination()
+        assert read(out) == [("x", 1), ("y", 5)]
+    with pytest.raises(ValueError, match="another checkpoint"):
+        append_changed_stream(spark.readStream.schema(schema).parquet(src), out, f"{tmp_path}/new", ["k"], ["v"])
+    more = f"{tmp_path}/more"
+    spark.createDataFrame([("x", T(2024, 1, 9), 1), ("y", T(2024, 1, 9), 6)], schema).write.parquet(more)
+    append_changed_stream(spark.readStream.schema(schema).parquet(more), f"{tmp_path}/out2", f"{tmp_path}/new", ["k"], ["v"], base=out).awaitTermination()
+    assert read(f"{tmp_path}/out2") == [("y", 6)]

@@ -6,9 +6,11 @@ unreadable value from a missing one.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+import html as html_module
+from collections.abc import Iterable, Iterator, Mapping
 from itertools import chain
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -110,33 +112,49 @@ def digit_codes(text: Column) -> Column:
     return F.when(F.size(found) > 0, F.array_join(found, ","))
 
 
-#: The entities that are decoded.
-ENTITIES = {"&nbsp;": " ", "&lt;": "<", "&gt;": ">", "&quot;": '"', "&#39;": "'", "&amp;": "&"}
+def _unescaped(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    for batch in batches:
+        yield pa.array([None if t is None else html_module.unescape(t) for t in batch.to_pylist()], pa.string())
+
+
+def stripped(text: Column) -> Column:
+    """A text without white space, of whatever script, at its ends."""
+    return F.regexp_replace(text, r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$", "")
+
+
+def untagged(html: Column) -> Column:
+    """An HTML fragment with line breaks and paragraph ends as newlines, without tags, and with all named and numeric
+    character references decoded (only texts with an ampersand go through Python)."""
+    out = F.regexp_replace(F.regexp_replace(html, r"(?i)<br\s*/?>|</p>", "\n"), "<[^>]+>", "")
+    decoded = F.arrow_udf(_unescaped, "string")(F.when(F.contains(out, F.lit("&")), out))
+    return F.coalesce(decoded, out)
 
 
 def html_text(html: Column) -> Column:
-    """Text of an HTML fragment: line breaks and paragraph ends become newlines, tags go, entities are decoded."""
-    out = F.regexp_replace(F.regexp_replace(html, r"(?i)<br\s*/?>|</p\s*>", "\n"), "<[^>]*>", "")
-    for entity, plain in ENTITIES.items():
-        out = F.replace(out, F.lit(entity), F.lit(plain))
-    return F.trim(out)
+    """Text of an HTML fragment, without white space at its ends."""
+    return stripped(untagged(html))
+
+
+#: Fixed value: texts up to this length that are no number stand for "no value".
+PLACEHOLDER_LENGTH = 8
 
 
 def accounting_amount(text: Column, sign: Column, power: Column) -> Column:
-    """(value, bad): an amount with parentheses for minus, a sign attribute and a power-of-ten scale.
+    """(value, bad): an amount with parentheses for minus, a sign attribute and a power-of-ten scale of either sign.
 
-    Short texts without digits are placeholders (null). Both minus conventions at once are bad.
+    A text that is no number is a placeholder (null) if it is short, else bad. Parentheses beside a sign attribute,
+    a sign attribute other than a minus, and numbers that aren't finite are bad.
     """
-    bare = F.trim(F.regexp_replace(text, ",", ""))
+    bare = F.regexp_replace(text, r"[,\s]", "")
     closed = bare.rlike(r"^\(.*\)$")
-    digits = F.regexp_replace(bare, r"^\((.*)\)$", "$1")
-    amount = digits.try_cast("decimal(28,6)")
-    placeholder = (F.length(bare) <= 4) & ~bare.rlike(r"\d")
-    minus = F.coalesce(sign == "-", F.lit(False))
-    scaled = amount * F.expr("cast(1 as decimal(10,0))") * F.pow(F.lit(10.0), F.coalesce(power, F.lit(0))).cast("decimal(12,0)")
-    both = closed & minus
-    value = F.when(~placeholder & ~both, F.when(closed | minus, -scaled).otherwise(scaled)).cast("decimal(38,6)")
-    return F.struct(value.alias("value"), (both | (~placeholder & amount.isNull())).alias("bad"))
+    cleaned = F.when(closed, F.concat(F.lit("-"), F.regexp_extract(bare, r"^\((.*)\)$", 1))).otherwise(bare)
+    amount = cleaned.try_cast("decimal(38,12)")
+    signed, minus = F.coalesce(sign != "", F.lit(False)), F.coalesce(sign == "-", F.lit(False))
+    infinite = cleaned.rlike(r"(?i)^[+-]?(s?nan\d*|inf|infinity)$")
+    bad = (closed & signed) | infinite | F.when(amount.isNull(), F.length(cleaned) > PLACEHOLDER_LENGTH).otherwise(signed & ~minus)
+    scaled = F.concat(amount.cast("string"), F.lit("E"), F.coalesce(power, F.lit(0)).cast("string")).try_cast("decimal(38,12)")
+    value = F.when(~bad, F.when(minus, -scaled).otherwise(scaled))
+    return F.struct(value.cast("decimal(38,12)").alias("value"), bad.alias("bad"))
 
 
 def split_code_name(text: Column) -> Column:

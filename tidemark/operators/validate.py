@@ -122,9 +122,12 @@ def ambiguous_events(df: DataFrame) -> DataFrame:
     return marked.where("__l > 1 or __d > 1").withColumn("violation", F.when(F.col("__l") > 1, "locator_repeats").otherwise("date_repeats")).drop("__l", "__d")
 
 
-def level_completeness(levels: DataFrame, key: Sequence[str], position: str | None = None, last: int = 17) -> DataFrame:
-    """C11: per security the missing and unknown levels, negative holdings and shares above 100 percent. Where the last
-    security by ``position`` is incomplete the file is ``truncated``."""
+def level_completeness(
+    levels: DataFrame, key: Sequence[str], position: str | None = None, last: int = 17, file: Sequence[str] = ()
+) -> DataFrame:
+    """C11: per security the missing and unknown levels, negative holdings and shares above 100 percent. With a
+    ``position`` also ``truncated``, of every security of a file (``file``: columns among ``key``): the file's last
+    security by position has a violation."""
     want = F.sequence(F.lit(1), F.lit(last))
     agg = [F.array_sort(F.collect_set("level")).alias("levels"), F.count_if((F.col("holders") < 0) | ((F.col("shares") < 0) & (F.col("level") != last - 1))).alias("__neg"), F.count_if(F.col("percent") > 100).alias("__over")]
     agg += [F.max(position).alias("__at")] if position else []
@@ -132,8 +135,8 @@ def level_completeness(levels: DataFrame, key: Sequence[str], position: str | No
     reason = first_reason((F.size(F.array_except("levels", want)) > 0, "unknown_level"), (F.size(F.array_except(want, F.col("levels"))) > 0, "missing_level"), (F.col("__neg") > 0, "negative_holding"), (F.col("__over") > 0, "over_hundred_percent"))
     out = per.withColumn("violation", reason)
     if position:
-        end = per.agg(F.max("__at").alias("__end"))
-        out = out.crossJoin(F.broadcast(end)).withColumn("violation", F.when((F.col("violation") == "missing_level") & (F.col("__at") == F.col("__end")), "truncated").otherwise(F.col("violation"))).drop("__end", "__at")
+        whole = Window.partitionBy(*file) if file else Window.partitionBy(F.lit(0))
+        out = out.withColumn("truncated", F.max_by(F.col("violation").isNotNull(), F.col("__at")).over(whole)).drop("__at")
     return out.drop("__neg", "__over")
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from bisect import bisect_left, bisect_right
 from collections.abc import Sequence
 
 import numpy as np
@@ -109,8 +110,7 @@ def expanding_percentile(rows: DataFrame, column: str, out: str, series: Sequenc
         found = np.full(len(values), np.nan)
         for i, v in enumerate(values):
             if not np.isnan(v):
-                low = int(np.searchsorted(held, v, "left")) if held else 0
-                high = int(np.searchsorted(held, v, "right")) if held else 0
+                low, high = bisect_left(held, v), bisect_right(held, v)
                 held.insert(high, v)
                 found[i] = np.rint((low + high + 2) / 2 / len(held) * 100 * 1e4) / 1e4
         group[out] = found

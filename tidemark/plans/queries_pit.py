@@ -130,11 +130,19 @@ def _(spark, d):
     return pit.rolling_as_of(available(spark, d), SERIES, "trade_date", DAILY, lambda rows, by: rows.select(*by, "trade_date", F.round(metrics.moving_average("close", 5, by), 6).alias("ma5")), lookback=5)
 
 
-@query("pit_lineage", days="trade_date", sql=f"""{with_('versions')}, v as (select * from versions qualify row_number() over (partition by stock_id, source, trade_date order by recorded_at desc) = 1)
-    select stock_id, source, trade_date, count(*) over w as input_count, sha256(string_agg(strftime(trade_date, '%Y-%m-%d') || '@' || strftime(recorded_at, '%Y-%m-%dT%H:%M:%S') || '+00:00', ',') over w) as input_fingerprint
-    from v window w as (partition by stock_id, source order by trade_date rows between unbounded preceding and current row)""")
+@query(
+    "pit_lineage",
+    days="trade_date",
+    sql=f"""{with_('versions')}, m as (select * replace (recorded_at + to_microseconds(volume % 4 * 250100) as recorded_at) from versions),
+    v as (select * from m qualify row_number() over (partition by stock_id, source, trade_date order by recorded_at desc) = 1),
+    i as (select *, strftime(trade_date, '%Y-%m-%d') || '@' || case when volume % 4 = 0 then strftime(recorded_at, '%Y-%m-%dT%H:%M:%S') else strftime(recorded_at, '%Y-%m-%dT%H:%M:%S.%f') end || '+00:00' as item from v)
+    select stock_id, source, trade_date, count(*) over w as input_count, sha256(string_agg(item, ',') over w) as input_fingerprint
+    from i window w as (partition by stock_id, source order by trade_date rows between unbounded preceding and current row)""",
+)
 def _(spark, d):
-    rows = pit.latest_per_key(versions(spark, d), KEY)
+    """Three of four versions are recorded at a fraction of a second."""
+    micros = F.expr("make_dt_interval(0, 0, 0, cast(volume % 4 * 0.2501 as decimal(18, 6)))")
+    rows = pit.latest_per_key(versions(spark, d).withColumn("recorded_at", F.col("recorded_at") + micros), KEY)
     return pit.with_lineage(rows, SERIES, "trade_date").select(*KEY, "input_count", "input_fingerprint")
 
 
@@ -198,7 +206,7 @@ def _(spark, d):
 @query("append_published_stamp", f"""{with_('reports')}, i as (select * from reports where n % 2 = 0), o as (select * from reports where n % 2 = 1 qualify row_number() over (partition by stock_id, report_year, report_category order by recorded_at desc, id desc) = 1)
     select i.id, case when o.id is null then i.published_at end as published_at from i left join o using (stock_id, report_year, report_category)""")
 def _(spark, d):
-    r = reports(spark, d).withColumn("recorded_at", F.col("recorded_at") + F.expr("make_dt_interval(0, 0, 0, 0)"))
+    r = reports(spark, d)
     judged = append.with_latest(r.where("n % 2 = 0"), r.where("n % 2 = 1"), ["stock_id", "report_year", "report_category"], ["n"])
     return append.stamp_published(judged, "first_capture").select("id", "published_at")
 

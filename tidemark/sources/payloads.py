@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.scalar import html_text, roc_date
+from tidemark.functions.scalar import roc_date, stripped, untagged
 
 TABLE = "struct<title:string, fields:array<string>, data:array<array<string>>>"
 PAYLOAD = f"stat string, date string, total int, title string, fields array<string>, data array<array<string>>, tables array<{TABLE}>"
@@ -74,11 +74,17 @@ def long_to_wide_levels(levels: DataFrame, keys: Sequence[str]) -> DataFrame:
     return levels.groupBy(*keys).agg(*cols, *adj, *total, dropped)
 
 
+_MARK = "\x01"
+
+
 def html_table_rows(pages: DataFrame, id_col: str, html: str = "html", cells: int | None = None) -> DataFrame:
     """(id, row_no, cells, violation) of HTML table rows (A7); rows whose first cell is a header are skipped, a wrong cell count is a violation."""
     row = F.regexp_extract_all(html, F.lit(r"(?is)<tr\b[^>]*>(.*?)</tr>"))
     rows = pages.select(id_col, F.posexplode(row).alias("row_no", "tr")).where(~F.col("tr").rlike(r"(?is)^\s*<th\b"))
-    cell = F.transform(F.regexp_extract_all("tr", F.lit(r"(?is)<td\b[^>]*>(.*?)</td>")), html_text)
+    found = F.regexp_extract_all("tr", F.lit(r"(?is)<td\b[^>]*>(.*?)</td>"))
+    # A row's cells are decoded in one text; no character reference stands for the mark between them.
+    joined = untagged(F.array_join(F.transform(found, lambda c: F.replace(c, F.lit(_MARK), F.lit(""))), _MARK))
+    cell = F.when(F.size(found) > 0, F.transform(F.split(joined, _MARK, -1), stripped)).otherwise(F.array().cast("array<string>"))
     out = rows.select(id_col, "row_no", cell.alias("cells"))
     return out.withColumn("violation", F.when(F.size("cells") != cells, "cell_count") if cells else F.lit(None).cast("string"))
 
@@ -106,21 +112,58 @@ def extract_facts(documents: DataFrame, id_col: str, body: str = "body") -> Data
     return j.select(id_col, "fact_no", "statement", "concept", "value_text", "sign", "scale", "period_start", "period_end", "unit", reason.alias("violation"))
 
 
-def announcement_changes(notices: DataFrame, id_col: str, text: str = "text", pattern: str = r"(\d{4})\s*(?:由|from)\s*(\S+?)\s*(?:改為|to)\s*(\S+)", effective: str = r"(\d{2,3}年\d{1,2}月\d{1,2}日)起", skip: str = "興櫃") -> DataFrame:
-    """Category changes named in notice texts (A10): one row per ``code from A to B``; the effective date must be unique.
-
-    Paragraphs with the skip word are removed first."""
-    kept = F.array_join(F.filter(F.split(text, "\n"), lambda p: ~F.contains(p, F.lit(skip))), "\n")
-    n = notices.select(id_col, kept.alias("__t"))
-    dates = F.array_distinct(F.regexp_extract_all("__t", F.lit(effective)))
-    hits = F.arrays_zip(F.regexp_extract_all("__t", F.lit(pattern), 1).alias("c"), F.regexp_extract_all("__t", F.lit(pattern), 2).alias("a"), F.regexp_extract_all("__t", F.lit(pattern), 3).alias("b"))
-    rows = n.select(id_col, dates.alias("d"), F.explode(hits).alias("h"))
-    return rows.select(id_col, F.col("h.c").alias("stock_id"), F.col("h.a").alias("old_industry"), F.col("h.b").alias("new_industry"), F.when(F.size("d") == 1, roc_date(F.col("d")[0])).alias("effective_date"), F.when(F.size("d") != 1, "effective_date_not_unique").alias("violation"))
-
-
-def subject_class(subject: Column, change: str, regulation: str) -> Column:
-    """change, regulation or out_of_scope by a notice's subject (A10)."""
-    return F.when(subject.rlike(change), "change").when(subject.rlike(regulation), "regulation").otherwise("out_of_scope")
+#: How notices name a change of category, its effective date, a numbered paragraph and the board whose
+#: paragraphs don't count.
+CHANGE = r"代號[：:\s]*([0-9]{4}[0-9A-Z]{0,2})\s*[)）]?\s*由「([^「」]+)」+\s*(?:改為|調整為)「([^「」]+)」"
+EFFECTIVE = (r"實施日期[：:]\s*(\d{2,3}年\d{1,2}月\d{1,2}日)", r"(?:自|於)(\d{2,3}年\d{1,2}月\d{1,2}日)起實施")
+PARAGRAPH = r"[一二三四五六七八九十]+、"
+EMERGING = "興櫃公司"
+
+
+def scoped_text(text: Column, skip: str = EMERGING) -> Column:
+    """A notice without the numbered paragraphs whose first line names ``skip``. What stands before the first numbered
+    paragraph stays; a text without any is one paragraph."""
+    parts = F.split(text, rf"(?m)(?=^{PARAGRAPH})")
+    numbered = F.exists(parts, lambda p: p.rlike(f"^{PARAGRAPH}"))
+    named = lambda p: F.contains(F.split(p, "\n", 2)[0], F.lit(skip))
+    return F.array_join(F.filter(parts, lambda p: ~(named(p) & (p.rlike(f"^{PARAGRAPH}") | ~numbered))), "")
+
+
+def announcement_changes(
+    notices: DataFrame, id_col: str, text: str = "text", subject: str | None = None, scoped: bool = True
+) -> DataFrame:
+    """Category changes named in notice texts (A10): one row per ``code from A to B``.
+
+    The effective date, stated in the text or the subject, must be one. With ``scoped`` the paragraphs about the
+    emerging board are left out of the changes (not of the dates)."""
+    said = F.concat_ws("\n", *([subject] if subject else []), text)
+    found = F.concat(*[F.regexp_extract_all(said, F.lit(p), 1) for p in EFFECTIVE])
+    dates = F.array_distinct(F.transform(found, roc_date))
+    body = scoped_text(F.col(text)) if scoped else F.col(text)
+    n = notices.select(id_col, dates.alias("d"), body.alias("__t"))
+    parts = [F.regexp_extract_all("__t", F.lit(CHANGE), i).alias(c) for i, c in enumerate("cab", 1)]
+    rows = n.select(id_col, "d", F.explode(F.arrays_zip(*parts)).alias("h"))
+    one = F.size("d") == 1
+    return rows.select(
+        id_col,
+        F.col("h.c").alias("stock_id"),
+        F.trim("h.a").alias("old_industry"),
+        F.trim("h.b").alias("new_industry"),
+        F.when(one, F.col("d")[0]).alias("effective_date"),
+        F.when(~one, "effective_date_not_unique").alias("violation"),
+    )
+
+
+#: Words of a notice's subject that make it a regulation or leave it out of scope.
+REGULATION_WORDS = ("要點", "準則")
+
+
+def subject_class(subject: Column) -> Column:
+    """change, regulation or out_of_scope by a notice's subject (A10): notices of the emerging board alone are out of scope."""
+    has = lambda word: F.contains(subject, F.lit(word))
+    emerging = has("創櫃") | (has("興櫃") & ~has("上櫃") & ~has("上（興）櫃"))
+    regulation = has(REGULATION_WORDS[0]) | has(REGULATION_WORDS[1])
+    return F.when(regulation, "regulation").when(emerging, "out_of_scope").otherwise("change")
 
 
 def trading_days(raw: DataFrame, asked_month: str, body: str = "body") -> DataFrame:
