@@ -158,9 +158,15 @@ def expected_quarters(spark, start: str, end: str) -> DataFrame:
     return day.where(last.between(F.lit(start).cast("date"), F.lit(end).cast("date"))).select(F.year("q").alias("report_year"), F.quarter("q").alias("report_quarter"))
 
 
+#: Periods of a grid: they stand in the plan.
+MAX_PERIODS = 5_000
+
+
 def expected_grid(stocks: DataFrame, periods: DataFrame) -> DataFrame:
     """Every stock with every period (D16): each stock's row carries the periods as one array and is exploded, so
-    no join is needed. Periods are a calendar's, a few hundred at most."""
+    no join is needed. Periods are a calendar's; more than ``MAX_PERIODS`` are refused."""
+    if periods.limit(MAX_PERIODS + 1).count() > MAX_PERIODS:
+        raise ValueError(f"more than {MAX_PERIODS} periods")
     held = periods.agg(F.array_sort(F.collect_list(F.struct(*periods.columns))).alias("__p")).first()
     if not held or not held["__p"]:
         return stocks.limit(0)

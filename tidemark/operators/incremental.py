@@ -53,11 +53,11 @@ def streak_restarts(computed: DataFrame, changed: DataFrame, columns: Sequence[s
     return first.where(long).select(*SERIES)
 
 
-def replace_series(stored: DataFrame, fresh: DataFrame, changed: DataFrame) -> DataFrame:
+def replace_series(stored: DataFrame, fresh: DataFrame, changed: DataFrame, date: str = "trade_date") -> DataFrame:
     """Stored rows before each changed series' start, its fresh rows from there on, other series as they are."""
     joined = stored.join(changed.select(*SERIES, F.col("start").alias("__start")), list(SERIES), "left")
-    keep = joined.where(F.col("__start").isNull() | (F.col("trade_date") < F.col("__start"))).drop("__start")
-    new = fresh.join(changed, list(SERIES)).where("trade_date >= start").drop("start")
+    keep = joined.where(F.col("__start").isNull() | (F.col(date) < F.col("__start"))).drop("__start")
+    new = fresh.join(changed, list(SERIES)).where(F.col(date) >= F.col("start")).drop("start")
     return keep.unionByName(new.select(*stored.columns))
 
 

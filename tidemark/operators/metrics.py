@@ -110,6 +110,7 @@ def recurrences(bars: DataFrame, series: Sequence[str] = SERIES, date: str = "tr
     return bars.groupBy(*series).applyInPandas(along, schema)
 
 
+#: The metrics of the panel, in their order.
 METRICS = (*(f"ma{n}" for n in WINDOWS), *(f"vma{n}" for n in WINDOWS), "k", "d", "rsi6", "rsi12", "macd_dif", "macd_dea", "macd_hist", "bb_upper", "bb_middle", "bb_lower")
 
 
@@ -149,11 +150,16 @@ def cumulative_flow(rows: DataFrame, column: str, series: Sequence[str] = SERIES
     return rows.withColumn(out, F.coalesce(F.sum(column).over(w), F.lit(0)))
 
 
+def flow_ratio(cumulative: Column, issued: Column) -> Column:
+    """A cumulative flow over issued shares in percent (F15), null without issued shares."""
+    return round_15_digits(guarded_ratio(cumulative, issued, 100.0))
+
+
 def cumulative_ratio(rows: DataFrame, holdings: DataFrame, cumulative: str = "cumulative_net", out: str = "cumulative_ratio") -> DataFrame:
     """Cumulative flow over same-day issued shares in percent (F15), null without issued shares."""
     day = holdings.select("stock_id", "trade_date", "issued_shares")
     joined = rows.join(day, ["stock_id", "trade_date"], "left")
-    return joined.withColumn(out, round_15_digits(guarded_ratio(F.col(cumulative), F.col("issued_shares"), 100.0))).drop("issued_shares")
+    return joined.withColumn(out, flow_ratio(F.col(cumulative), F.col("issued_shares"))).drop("issued_shares")
 
 
 GROUPS = {"small": range(1, 9), "mid": range(9, 12), "large": range(12, 16)}

@@ -53,10 +53,13 @@ def calendar_range(calendar: DataFrame, start: Column, end: Column) -> DataFrame
 
 
 def trading_axis(calendar: DataFrame, rows: DataFrame, series: Sequence[str]) -> DataFrame:
-    """Per series the calendar days between its first and last row and its own off-calendar days, flagged."""
+    """Per series the calendar days between its first and last row and its own off-calendar days, flagged.
+
+    A series' days are counted out from its first to its last and joined with the calendar by equality."""
     ends = rows.groupBy(*series).agg(F.min("trade_date").alias("__a"), F.max("trade_date").alias("__z"))
     cal = calendar.select(F.col("trade_date")).distinct()
-    days = ends.join(F.broadcast(cal), F.col("trade_date").between(F.col("__a"), F.col("__z"))).select(*series, "trade_date", F.lit(True).alias("on_calendar"))
+    every = ends.select(*series, F.explode(F.sequence("__a", "__z")).alias("trade_date"))
+    days = every.join(cal, "trade_date", "left_semi").select(*series, "trade_date", F.lit(True).alias("on_calendar"))
     off = rows.select(*series, "trade_date").distinct().join(cal, "trade_date", "left_anti").select(*series, "trade_date", F.lit(False).alias("on_calendar"))
     return days.unionByName(off)
 

@@ -188,15 +188,47 @@ def report_facts(versions: DataFrame, facts: DataFrame, statements: Sequence[str
     return joined.orderBy(*order).limit(limit + 1) if limit is not None else joined
 
 
-def look_ahead_audit(available: DataFrame, keys: Sequence[str], probes: DataFrame, visible: Callable[[DataFrame, Column], DataFrame]) -> DataFrame:
-    """(probe, leaked) at every probe instant (E22): visible rows of the probe that became public after it.
+#: Probes of an audit: they stand in the plan.
+MAX_PROBES = 1_000
 
-    ``visible(rows, cutoff)`` is the read under test; it gets the rows once per probe (columns of ``available``
-    and ``probe``). The probes' number is checked: a thousand at most.
+
+def look_ahead_audit(available: DataFrame, keys: Sequence[str], probes: DataFrame, visible_from: Column | None = None) -> DataFrame:
+    """(probe, leaked, visible) at every probe instant (E22): visible rows of the probe, and those that became public after it.
+
+    ``visible_from`` is the read under test: the instant from which it shows a row (by default the later of available_at
+    and recorded_at, as ``market_pit`` does). A row is shown until a later recorded row of its key is, so every row
+    is an interval; its first and last probe are counted, and running sums of the counts give all probes. Rows are
+    compared with their key's alone and nothing is multiplied by the number of probes (``MAX_PROBES`` at most).
     """
-    n = probes.count()
-    if n > 1000:
-        raise ValueError(f"{n} probes; audit a thousand at a time")
-    seen = visible(available.crossJoin(F.broadcast(probes)), F.col("probe"))
-    leaked = seen.groupBy("probe").agg(F.count_if(F.col("available_at") > F.col("probe")).alias("leaked"), F.count("*").alias("visible"))
-    return probes.join(leaked, "probe", "left").fillna(0, ["leaked", "visible"])
+    at = [r[0] for r in probes.select("probe").distinct().orderBy("probe").limit(MAX_PROBES + 1).collect()]
+    if len(at) > MAX_PROBES:
+        raise ValueError(f"more than {MAX_PROBES} probes; audit them in parts")
+    if not at:
+        return probes.select("probe", F.lit(0).cast("bigint").alias("leaked"), F.lit(0).cast("bigint").alias("visible"))
+    seen = F.greatest("available_at", "recorded_at") if visible_from is None else visible_from
+    later = Window.partitionBy(*keys).orderBy("recorded_at").rowsBetween(1, Window.unboundedFollowing)
+    shown = available.select(*keys, "recorded_at", "available_at", seen.alias("__from")).where("__from is not null")
+    shown = shown.withColumn("__until", F.min("__from").over(later))
+    instants = F.array(*[F.lit(p) for p in at])
+
+    def before(instant: str) -> Column:
+        """How many probes are before an instant: a binary search."""
+        steps = [1 << b for b in reversed(range(len(at).bit_length()))]
+        place = F.lit(0)
+        for step in steps:
+            here = F.try_element_at(instants, place + step)
+            place = F.when(here < F.col(instant), place + step).otherwise(place)
+        return F.coalesce(F.when(F.col(instant).isNull(), len(at)).otherwise(place), F.lit(len(at)))
+
+    placed = shown.select(before("__from").alias("a"), before("__until").alias("z"), before("available_at").alias("p"))
+    ends = F.array(
+        F.struct(F.col("a").alias("i"), F.lit(1).alias("v"), F.lit(0).alias("n")),
+        F.struct(F.col("z").alias("i"), F.lit(-1).alias("v"), F.lit(0).alias("n")),
+        F.struct(F.col("a").alias("i"), F.lit(0).alias("v"), F.when(F.col("a") < F.least("z", "p"), 1).otherwise(0).alias("n")),
+        F.struct(F.least("z", "p").alias("i"), F.lit(0).alias("v"), F.when(F.col("a") < F.least("z", "p"), -1).otherwise(0).alias("n")),
+    )
+    steps = placed.where("a < z").select(F.explode(ends).alias("e")).groupBy("e.i").agg(F.sum("e.v").alias("v"), F.sum("e.n").alias("n"))
+    axis = probes.sparkSession.range(len(at)).select(F.col("id").cast("int").alias("i"), F.element_at(instants, F.col("id").cast("int") + 1).alias("probe"))
+    run = Window.orderBy("i").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    counted = axis.join(steps, "i", "left").select("probe", F.coalesce(F.sum("n").over(run), F.lit(0)).alias("leaked"), F.coalesce(F.sum("v").over(run), F.lit(0)).alias("visible"))
+    return probes.join(counted, "probe")

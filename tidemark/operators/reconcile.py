@@ -7,6 +7,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.operators.sizes import small
+
 SERIES = ("stock_id", "source")
 
 
@@ -172,7 +174,7 @@ def classify_gaps(bars: DataFrame, events: DataFrame, calendar: DataFrame, spans
     pairs = placed.withColumn("previous_date", F.lag("trade_date").over(w)).withColumn("p", F.lag("c").over(w)).withColumn("first", F.min("trade_date").over(Window.partitionBy(*SERIES)))
     n = pairs.where("previous_date is not null and p <> 0")
     for name in ("trade_date", "previous_date", "listed", "first"):
-        n = n.join(F.broadcast(s.select(F.col("trade_date").alias(name), F.col("session").alias(f"s_{name}"))), name, "left")
+        n = n.join(small(s.select(F.col("trade_date").alias(name), F.col("session").alias(f"s_{name}"))), name, "left")
     n = n.withColumn("sessions", F.col("s_trade_date") - F.col("s_previous_date")).withColumn("ratio", F.col("c") / F.col("p")).where(beyond_limit(F.col("ratio"), F.col("sessions")))
     since = lambda c: F.col("s_trade_date") - F.col(c) + 1 <= free_sessions
     event = F.coalesce(F.col("event") > F.col("previous_date"), F.lit(False))

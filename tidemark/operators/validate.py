@@ -11,6 +11,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.operators.sizes import small
+
 
 def first_reason(*rules: tuple[Column, str]) -> Column:
     """The reason of the first rule whose condition holds."""
@@ -178,12 +180,12 @@ def sweep_violations(sweep: DataFrame, categories: DataFrame, managed: str | Non
 
 def notice_violations(changes: DataFrame, categories: DataFrame) -> DataFrame:
     """Reason per change of a notice (document_number, stock_id, effective_date, old_industry, new_industry)."""
-    c = categories.select("code", "valid_from", "valid_to")
+    c = small(categories.select("code", "valid_from", "valid_to", F.lit(1).alias("__hit")))
     w = Window.partitionBy("document_number", "stock_id")
 
     def in_effect(rows: DataFrame, column: str, day: Column, out: str) -> DataFrame:
         hit = (F.col(column) == F.col("code")) & (F.col("valid_from").isNull() | (day >= F.col("valid_from"))) & (F.col("valid_to").isNull() | (day < F.col("valid_to")))
-        return rows.join(F.broadcast(c.withColumn("__hit", F.lit(1))), hit, "left").withColumn(out, F.col("__hit").isNotNull()).drop("code", "valid_from", "valid_to", "__hit")
+        return rows.join(c, hit, "left").withColumn(out, F.col("__hit").isNotNull()).drop("code", "valid_from", "valid_to", "__hit")
 
     out = in_effect(in_effect(changes, "old_industry", F.date_sub("effective_date", 1), "__old"), "new_industry", F.col("effective_date"), "__new")
     out = out.withColumn("__n", F.count("*").over(w))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions import instants
-from tidemark.operators import append, metrics, pit
+from tidemark.operators import append, metrics, pit, rolling
 from tidemark.plans.panels import actions, facts, reports, table, versions, with_
 from tidemark.plans.registry import query
 
@@ -130,6 +130,36 @@ def _(spark, d):
     return pit.rolling_as_of(available(spark, d), SERIES, "trade_date", DAILY, lambda rows, by: rows.select(*by, "trade_date", F.round(metrics.moving_average("close", 5, by), 6).alias("ma5")), lookback=5)
 
 
+def _along(rows: str, first: str, step: str) -> str:
+    """A recurrence along a list of a group, in date order: an accumulator that starts as the first element."""
+    return f"list_reduce(list_transform({rows}, lambda x: {first}), lambda a, x: {step})"
+
+
+#: Every date's visible closes and volumes in order, then each metric of the whole list's last place.
+_ROLLING = f"""{with_('available')}, cut as (select distinct stock_id, source, trade_date as day, trade_date::timestamp + interval 19 hour as cutoff from versions),
+    seen as (select c.stock_id, c.source, c.day, v.trade_date, max_by({{'c': v.close, 'v': v.volume}}, v.recorded_at) as r from cut c join available v on v.stock_id = c.stock_id and v.source = c.source and v.trade_date <= c.day and v.available_at <= c.cutoff group by 1, 2, 3, 4),
+    w as (select stock_id, source, day, trade_date, r.c as c, r.v as v, case when count(*) over nine = 9 and max(r.c) over nine + 1 > min(r.c) over nine - 1 then (r.c - (min(r.c) over nine - 1)) / (max(r.c) over nine + 1 - (min(r.c) over nine - 1)) * 100 else 50.0 end as rsv,
+        r.c - lag(r.c) over (partition by stock_id, source, day order by trade_date) as change from seen window nine as (partition by stock_id, source, day order by trade_date rows between 8 preceding and current row)),
+    l as (select stock_id, source, day, list(c order by trade_date) as c, list(v order by trade_date) as v, list(rsv order by trade_date) as rsv, list(change order by trade_date) filter (change is not null) as ch from w group by 1, 2, 3),
+    m as (select stock_id, source, day as trade_date, c, v, len(c) as n, c[-20:] as c20,
+        {_along("rsv", "{'k': x, 'd': x}", "{'k': a.k * 2 / 3 + x.k / 3, 'd': a.d * 2 / 3 + (a.k * 2 / 3 + x.k / 3) / 3}")} as kd,
+        {_along("c", "{'f': x, 's': x, 'e': 0.0::double}", "{'f': a.f * 11 / 13 + x.f * 2 / 13, 's': a.s * 25 / 27 + x.s * 2 / 27, 'e': a.e * 0.8 + ((a.f * 11 / 13 + x.f * 2 / 13) - (a.s * 25 / 27 + x.s * 2 / 27)) * 0.2}")} as macd,
+        {_along("ch", "{'g': greatest(x, 0), 'l': greatest(-x, 0)}", "{'g': a.g * 5 / 6 + x.g, 'l': a.l * 5 / 6 + x.l}")} as r6,
+        {_along("ch", "{'g': greatest(x, 0), 'l': greatest(-x, 0)}", "{'g': a.g * 11 / 12 + x.g, 'l': a.l * 11 / 12 + x.l}")} as r12 from l)
+    select stock_id, source, trade_date, {', '.join(f"round(case when n >= {k} then list_sum({c}[-{k}:])::double / {k} end, 4) as {p}ma{k}" for p, c in (('', 'c'), ('v', 'v')) for k in metrics.WINDOWS)},
+    round(kd.k, 4) as k, round(kd.d, 4) as d, {', '.join(f"round(case when n > {k} and r{k}.g + r{k}.l > 0 then 100 * r{k}.g / (r{k}.g + r{k}.l) end, 4) as rsi{k}" for k in (6, 12))},
+    round(macd.f - macd.s, 4) as macd_dif, round(macd.e, 4) as macd_dea, round(macd.f - macd.s - macd.e, 4) as macd_hist,
+    {', '.join(f"round(case when n >= 20 then list_sum(c20)::double / 20 {w} end, 4) as bb_{b}" for b, w in (('upper', '+ 2 * list_stddev_samp(c20)'), ('middle', ''), ('lower', '- 2 * list_stddev_samp(c20)')))} from m"""
+
+
+@query("pit_rolling_panel", days="trade_date", sql=_ROLLING)
+def _(spark, d):
+    """All 22 metrics of every date as the market saw them at its own release instant."""
+    rows = available(spark, d).withColumn("high", F.col("close") + 1).withColumn("low", F.col("close") - 1)
+    found = rolling.rolling_panel(rows, DAILY)
+    return found.select(*KEY, *[F.round(F.nanvl(m, F.lit(None).cast("double")), 4).alias(m) for m in metrics.METRICS])
+
+
 @query(
     "pit_lineage",
     days="trade_date",
@@ -152,7 +182,7 @@ def _(spark, d):
     a = available(spark, d)
     instants_ = a.groupBy(F.date_trunc("month", "available_at")).agg(F.min("available_at").alias("available_at"))
     probes = instants_.select(F.explode(F.array(F.col("available_at") - F.expr("interval 1 second"), F.col("available_at") + F.expr("interval 1 second"))).alias("probe")).distinct()
-    return pit.look_ahead_audit(a, KEY, probes, lambda rows, cutoff: pit.market_pit(rows, [*KEY, "probe"], cutoff, cutoff))
+    return pit.look_ahead_audit(a, KEY, probes)
 
 
 @query("pit_single_source", f"""{with_('versions')}, m as (select *, case when stock_id::int % 5 = 0 and volume % 2 = 0 then 'gamma' else source end as s2 from versions)
