@@ -22,8 +22,11 @@ def _ma(c, n):
     return f"round(case when count({c}) over w{n} = {n} then sum({c}::decimal(28,6)) over w{n}::double / {n} end, 6) as {'v' if c == 'volume' else ''}ma{n}"
 
 
-@query("metric_moving_averages", days="trade_date", sql=f"""{with_('bars')} select stock_id, source, trade_date, {', '.join(_ma(c, n) for c in ('close', 'volume') for n in metrics.WINDOWS)} from bars
-    window {', '.join(f'w{n} as (partition by stock_id, source order by trade_date rows between {n - 1} preceding and current row)' for n in metrics.WINDOWS)}""")
+MOVING_SQL = f"""{with_('bars')} select stock_id, source, trade_date, {', '.join(_ma(c, n) for c in ('close', 'volume') for n in metrics.WINDOWS)} from bars
+    window {', '.join(f'w{n} as (partition by stock_id, source order by trade_date rows between {n - 1} preceding and current row)' for n in metrics.WINDOWS)}"""
+
+
+@query("metric_moving_averages", days="trade_date", sql=MOVING_SQL)
 def _(spark, d):
     out = metrics.moving_averages(bars(spark, d))
     names = [f"{v}ma{n}" for v in ("", "v") for n in metrics.WINDOWS]
@@ -38,7 +41,7 @@ def _(spark, d):
     return rounded(rounded(out, ["bb_middle", "bb_upper", "bb_lower"], 4), ["rsv"])
 
 
-_KD = f"""{with_('bars').replace('with ', 'with recursive ', 1)}, x as (select *, row_number() over (partition by stock_id, source order by trade_date) as i, count(*) over v as n, min(low) over v as lo, max(high) over v as hi from bars
+KD_SQL = f"""{with_('bars').replace('with ', 'with recursive ', 1)}, x as (select *, row_number() over (partition by stock_id, source order by trade_date) as i, count(*) over v as n, min(low) over v as lo, max(high) over v as hi from bars
         window v as (partition by stock_id, source order by trade_date rows between 8 preceding and current row)),
     y as materialized (select stock_id, source, trade_date, i, case when n = 9 and hi > lo then (close - lo) / (hi - lo) * 100 else 50.0::double end as rsv, close from x),
     r as (select stock_id, source, trade_date, i, rsv as k, rsv as d, close as fast, close as slow, 0.0::double as dea from y where i = 1
@@ -47,7 +50,7 @@ _KD = f"""{with_('bars').replace('with ', 'with recursive ', 1)}, x as (select *
     select stock_id, source, trade_date, round(k, 4) as k, round(d, 4) as d, round(fast - slow, 4) as macd_dif, round(dea, 4) as macd_dea, round(fast - slow - dea, 4) as macd_hist from r"""
 
 
-@query("metric_kd_macd", days="trade_date", sql=_KD)
+@query("metric_kd_macd", days="trade_date", sql=KD_SQL)
 def _(spark, d):
     names = ["k", "d", "macd_dif", "macd_dea", "macd_hist"]
     return rounded(metrics.recurrences(metrics.rsv(bars(spark, d))).select(*KEY, *names), names, 4)
@@ -59,8 +62,11 @@ def technical_panel(spark, d):
     return rounded(metrics.technical_panel(bars(spark, d)), metrics.METRICS)
 
 
-@query("metric_streaks", days="trade_date", sql=f"""{with_('flows')}, x as (select *, coalesce(sign(net), 0) as s from flows where volume > 0), y as (select *, case when s <> coalesce(lag(s) over w, 9) then 1 else 0 end as b from x window w as (partition by stock_id, source order by trade_date)),
-    z as (select *, sum(b) over (partition by stock_id, source order by trade_date) as g from y) select stock_id, source, trade_date, (s * row_number() over (partition by stock_id, source, g order by trade_date))::bigint as net_streak_days from z""")
+STREAKS_SQL = f"""{with_('flows')}, x as (select *, coalesce(sign(net), 0) as s from flows where volume > 0), y as (select *, case when s <> coalesce(lag(s) over w, 9) then 1 else 0 end as b from x window w as (partition by stock_id, source order by trade_date)),
+    z as (select *, sum(b) over (partition by stock_id, source order by trade_date) as g from y) select stock_id, source, trade_date, (s * row_number() over (partition by stock_id, source, g order by trade_date))::bigint as net_streak_days from z"""
+
+
+@query("metric_streaks", days="trade_date", sql=STREAKS_SQL)
 def _(spark, d):
     f = flows(spark, d)
     sources = spark.createDataFrame([("feed", "board")], "source string, price_source string")
@@ -68,8 +74,11 @@ def _(spark, d):
     return metrics.streaks(axis, ["net"]).select(*KEY, F.col("net_streak_days").cast("bigint").alias("net_streak_days"))
 
 
-@query("metric_cumulative_flow", days="trade_date", sql=f"""{with_('flows')}, c as (select *, coalesce(sum(net) over (partition by stock_id, source order by trade_date rows unbounded preceding), 0)::bigint as cumulative_net from flows)
-    select stock_id, source, trade_date, cumulative_net, case when n_events % 3 <> 0 then round(round(cumulative_net * 100.0::double / (n_events * 1000), 10), 4) end as cumulative_ratio from c""")
+CUMULATIVE_SQL = f"""{with_('flows')}, c as (select *, coalesce(sum(net) over (partition by stock_id, source order by trade_date rows unbounded preceding), 0)::bigint as cumulative_net from flows)
+    select stock_id, source, trade_date, cumulative_net, case when n_events % 3 <> 0 then round(round(cumulative_net * 100.0::double / (n_events * 1000), 10), 4) end as cumulative_ratio from c"""
+
+
+@query("metric_cumulative_flow", days="trade_date", sql=CUMULATIVE_SQL)
 def _(spark, d):
     f = flows(spark, d)
     held = f.where("n_events % 3 <> 0").select("stock_id", "trade_date", (F.col("n_events") * 1000).alias("issued_shares"))
@@ -99,9 +108,12 @@ def _plus(c, lo, hi):
     return " + ".join(f"{c}_{i}" for i in range(lo, hi))
 
 
-@query("metric_concentration", days="snapshot_date", sql=f"""{_LEVELS}, g as (select stock_id, source, snapshot_date, ({_plus('percent', 12, 16)})::double as l, ({_plus('percent', 9, 12)})::double as m, ({_plus('percent', 1, 9)})::double as s, {_plus('holders', 12, 16)} as large_holder_count, {_plus('holders', 1, 9)} as small_holder_count from wide)
+CONCENTRATION_SQL = f"""{_LEVELS}, g as (select stock_id, source, snapshot_date, ({_plus('percent', 12, 16)})::double as l, ({_plus('percent', 9, 12)})::double as m, ({_plus('percent', 1, 9)})::double as s, {_plus('holders', 12, 16)} as large_holder_count, {_plus('holders', 1, 9)} as small_holder_count from wide)
     select stock_id, source, snapshot_date, round(l, 2) as large_holder_ratio, round(l - lag(l) over w, 2) as large_holder_ratio_wow, round(m, 2) as mid_holder_ratio, round(m - lag(m) over w, 2) as mid_holder_ratio_wow, round(s, 2) as small_holder_ratio, round(s - lag(s) over w, 2) as small_holder_ratio_wow,
-    round(l - s, 2) as concentration_spread, round((l - s) - lag(l - s) over w, 2) as concentration_spread_wow, large_holder_count, small_holder_count from g window w as (partition by stock_id, source order by snapshot_date)""")
+    round(l - s, 2) as concentration_spread, round((l - s) - lag(l - s) over w, 2) as concentration_spread_wow, large_holder_count, small_holder_count from g window w as (partition by stock_id, source order by snapshot_date)"""
+
+
+@query("metric_concentration", days="snapshot_date", sql=CONCENTRATION_SQL)
 def _(spark, d):
     return metrics.concentration(long_to_wide_levels(levels(spark, d), ["stock_id", "source", "snapshot_date"]))
 
@@ -112,6 +124,11 @@ def margin(spark, d):
     return b.select(*KEY, v.alias("margin_balance"), (v + c % 7 - 3).alias("margin_previous_balance"), (F.when(c % 5 != 0, v * 4)).alias("margin_limit"), (c % 50).alias("short_balance"), (c % 48).alias("short_previous_balance"), (c % 11 * 30).alias("short_limit"))
 
 
+def lending(spark, d):
+    named = {"margin_balance": "balance", "margin_previous_balance": "previous_balance", "short_balance": "sold", "short_previous_balance": "returned"}
+    return margin(spark, d).select(*KEY, *[F.col(c).alias(n) for c, n in named.items()])
+
+
 def _pct(n, dd, s=100.0):
     return f"case when {dd} > 0 then round(({n})::double / ({dd})::double * {s}, 4) end"
 
@@ -119,16 +136,21 @@ def _pct(n, dd, s=100.0):
 _MARGIN = f"""{with_('bars')}, m as (select stock_id, source, trade_date, volume as mb, volume + floor(close)::bigint % 7 - 3 as mp, case when floor(close)::bigint % 5 <> 0 then volume * 4 end as ml, floor(close)::bigint % 50 as sb, floor(close)::bigint % 48 as sp, floor(close)::bigint % 11 * 30 as sl from bars)"""
 
 
-@query("metric_margin", days="trade_date", sql=f"""{_MARGIN} select stock_id, source, trade_date, {_pct('mb', 'ml')} as margin_usage_ratio, mb - mp as margin_balance_change, {_pct('mb - mp', 'mp')} as margin_balance_change_pct,
-    {_pct('sb', 'sl')} as short_usage_ratio, sb - sp as short_balance_change, {_pct('sb - sp', 'sp')} as short_balance_change_pct, {_pct('sb', 'mb')} as short_cover_pressure from m""")
+MARGIN_SQL = f"""{_MARGIN} select stock_id, source, trade_date, {_pct('mb', 'ml')} as margin_usage_ratio, mb - mp as margin_balance_change, {_pct('mb - mp', 'mp')} as margin_balance_change_pct,
+    {_pct('sb', 'sl')} as short_usage_ratio, sb - sp as short_balance_change, {_pct('sb - sp', 'sp')} as short_balance_change_pct, {_pct('sb', 'mb')} as short_cover_pressure from m"""
+
+
+@query("metric_margin", days="trade_date", sql=MARGIN_SQL)
 def _(spark, d):
     return metrics.margin_metrics(margin(spark, d))
 
 
-@query("metric_short_interest", days="trade_date", sql=f"""{_MARGIN} select stock_id, source, trade_date, mb - mp as sbl_balance_change, {_pct('mb - mp', 'mp')} as sbl_balance_change_pct, {_pct('sb', 'sp', 1.0)} as sbl_sell_repay_ratio from m""")
+SHORT_SQL = f"""{_MARGIN} select stock_id, source, trade_date, mb - mp as sbl_balance_change, {_pct('mb - mp', 'mp')} as sbl_balance_change_pct, {_pct('sb', 'sp', 1.0)} as sbl_sell_repay_ratio from m"""
+
+
+@query("metric_short_interest", days="trade_date", sql=SHORT_SQL)
 def _(spark, d):
-    m = margin(spark, d).select(*KEY, F.col("margin_balance").alias("balance"), F.col("margin_previous_balance").alias("previous_balance"), F.col("short_balance").alias("sold"), F.col("short_previous_balance").alias("returned"))
-    return metrics.short_interest_metrics(m)
+    return metrics.short_interest_metrics(lending(spark, d))
 
 
 @query("rounding_three_ways", """select l_orderkey, l_linenumber, round(l_extendedprice * l_discount / 7, 4) as fifteen_digits, round_even(l_extendedprice / l_quantity * 100.0::double, 0) / 100 as half_even, round((l_extendedprice::decimal(20,2) * 3)::decimal(20,4), 1)::double as half_up from lineitem""")
@@ -185,9 +207,12 @@ def valued(spark, d):
     return valuation.valuation_metrics(bars(spark, d).select(*KEY, "close"), quarters(spark, d))
 
 
-@query("valuation_metrics", days="trade_date", sql=f"""{_TTM} select a.stock_id, a.source, a.trade_date, any_value(a.ttm_eps)::double as ttm_eps, any_value(a.pe_ratio) as pe_ratio, round(any_value(a.roe), 1) as roe,
+VALUATION_SQL = f"""{_TTM} select a.stock_id, a.source, a.trade_date, any_value(a.ttm_eps)::double as ttm_eps, any_value(a.pe_ratio) as pe_ratio, round(any_value(a.roe), 1) as roe,
     case when any_value(a.pe_ratio) is not null then round_even((count(*) filter (b.pe_ratio < a.pe_ratio) + (count(*) filter (b.pe_ratio = a.pe_ratio) + 1) / 2.0::double) / count(b.pe_ratio) * 100 * 10000, 0) / 10000 end as pe_percentile
-    from val a join val b on b.stock_id = a.stock_id and b.source = a.source and b.trade_date <= a.trade_date group by 1, 2, 3""")
+    from val a join val b on b.stock_id = a.stock_id and b.source = a.source and b.trade_date <= a.trade_date group by 1, 2, 3"""
+
+
+@query("valuation_metrics", days="trade_date", sql=VALUATION_SQL)
 def _(spark, d):
     v = valued(spark, d)
     return v.select(*KEY, "ttm_eps", "pe_ratio", F.round("roe", 1).alias("roe"), "pe_percentile")
