@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark.datasets import OBSERVED, dataset
 from tidemark.functions import instants, scalar
-from tidemark.operators import append, incremental, metrics, panel, pit, spans, validate, valuation
+from tidemark.operators import append, derived, incremental, metrics, panel, pit, reads, rolling, spans, validate, valuation
 from tidemark.sources import payloads, tables
 
 D, T = dt.date, dt.datetime
@@ -323,3 +323,97 @@ def test_append_stream_replays_a_batch(spark, tmp_path):
     spark.createDataFrame([("x", T(2024, 1, 9), 1), ("y", T(2024, 1, 9), 6)], schema).write.parquet(more)
     append_changed_stream(spark.readStream.schema(schema).parquet(more), f"{tmp_path}/out2", f"{tmp_path}/new", ["k"], ["v"], base=out).awaitTermination()
     assert read(f"{tmp_path}/out2") == [("y", 6)]
+
+
+def test_request_contexts():
+    utc, taipei = dt.UTC, dt.timezone(dt.timedelta(hours=8))
+    arrived = T(2024, 6, 1, tzinfo=utc)
+    assert reads.context(arrived) == reads.Market(arrived, arrived)
+    assert reads.context(arrived, information_as_of="2024-05-01T08:00:00+08:00") == reads.Market(T(2024, 5, 1, tzinfo=utc), arrived)
+    assert reads.context(arrived, system_as_of=T(2024, 5, 1, 8, tzinfo=taipei)) == reads.System(T(2024, 5, 1, tzinfo=utc))
+    assert reads.context(arrived, knowledge_as_of="latest") == reads.Market(arrived, arrived)
+    for bad, message in (({"information_as_of": "2024-05-01"}, "offset"), ({"system_as_of": T(2024, 5, 1)}, "offset"), ({"when": "now"}, "unknown"), ({"knowledge_as_of": "soon"}, "ISO")):
+        with pytest.raises(ValueError, match=message):
+            reads.context(arrived, **bad)
+    with pytest.raises(ValueError, match="combined"):
+        reads.context(arrived, system_as_of="now", knowledge_as_of="now")
+
+
+def test_reads_by_name(spark, tmp_path):
+    schema = dataset("industry_changes").schema
+    rows = [("1", "n", D(2024, 3, 1), T(2024, 2, 1), D(2024, 1, 31), "d", "01", "02", None, "f"), ("2", "n", D(2024, 4, 1), T(2024, 2, 2), D(2024, 2, 1), "d", "01", "03", None, "f")]
+    spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/industry_changes")
+    arrived = T(2024, 6, 1, tzinfo=dt.UTC)
+    see = lambda at, **k: [r.stock_id for r in reads.visible_rows(spark, str(tmp_path), "industry_changes", at, **k).orderBy("stock_id").collect()]
+    assert see(reads.context(arrived)) == ["1", "2"] and see(reads.context(arrived), stock_ids=["2"]) == ["2"]
+    assert see(reads.context(arrived, information_as_of="2024-02-01T00:00:00+08:00")) == ["1"]
+    assert see(reads.context(arrived, system_as_of="2024-02-01T12:00:00Z")) == ["1"]
+    assert see(reads.context(arrived), start=D(2024, 2, 1)) == ["2"]
+    with pytest.raises(ValueError, match="no index_name"):
+        see(reads.context(arrived), index_names=["x"])
+    with pytest.raises(ValueError, match="after end"):
+        see(reads.context(arrived), start=D(2024, 2, 1), end=D(2024, 1, 1))
+    with pytest.raises(ValueError, match="unknown dataset"):
+        reads.visible_rows(spark, str(tmp_path), "nothing", reads.context(arrived))
+    technical = derived.derived_datasets({}, {})["technical_indicators"]
+    with pytest.raises(ValueError, match="earlier cutoff"):
+        reads.derived_rows(spark.range(1), technical, {}, reads.context(arrived, knowledge_as_of="2024-05-01T00:00:00Z"), arrived)
+
+
+def test_rolling_panel_equals_recomputing_every_segment(spark):
+    r = random.Random(9)
+    rows = []
+    for d in range(60):
+        day = D(2024, 1, 1) + dt.timedelta(days=d)
+        at = T(day.year, day.month, day.day, 18)
+        for extra in [0, *[r.randint(1, 900) for _ in range(r.choice([0, 0, 0, 1, 2]))]]:
+            close = None if r.random() < 0.1 else round(50 + r.gauss(0, 5), 2)
+            rows.append(("1", "a", day, at + dt.timedelta(hours=extra), close, None if close is None or r.random() < 0.05 else close + 1, None if close is None else close - 1, r.randint(1, 9)))
+    schema = "stock_id string, source string, trade_date date, recorded_at timestamp_ntz, close double, high double, low double, volume bigint"
+    rows = list({(x[2], x[3]): x for x in rows}.values())
+    a = pit.with_available_at(spark.createDataFrame(rows, schema), KEY, "trade_date", instants.exchange_daily_settled)
+    want = pit.rolling_as_of(a, SERIES, "trade_date", instants.exchange_daily_settled, lambda df, by: metrics.technical_panel(df, by)).orderBy("trade_date").collect()
+    got = rolling.rolling_panel(a, instants.exchange_daily_settled).orderBy("trade_date").collect()
+    assert len(got) == len(want) == 60
+    for g, w in zip(got, want):
+        for m in metrics.METRICS:
+            x, y = (None if v is None or math.isnan(v) else v for v in (g[m], w[m]))
+            assert (x is None) == (y is None) and (x is None or x == pytest.approx(y, abs=1e-9)), (g.trade_date, m)
+
+
+def test_audit_finds_a_read_that_looks_ahead(spark):
+    r = random.Random(4)
+    rows = [(d, T(2024, 1, d, 20) + dt.timedelta(hours=h), d) for d in range(1, 15) for h in {0, *(r.randint(1, 200) for _ in range(2))}]
+    a = pit.with_available_at(versions(spark, rows), KEY, "trade_date", instants.exchange_daily_settled)
+    at = [T(2024, 1, d, h) for d in range(1, 28) for h in (0, 13)]
+    probes = spark.createDataFrame([(x,) for x in at], "probe timestamp_ntz")
+    held = a.collect()
+    for rule, instant in ((None, lambda x: max(x.available_at, x.recorded_at)), (F.col("recorded_at"), lambda x: x.recorded_at), (F.col("available_at"), lambda x: x.available_at)):
+        got = {x.probe: (x.leaked, x.visible) for x in pit.look_ahead_audit(a, KEY, probes, rule).collect()}
+        for p in at:
+            seen = {}
+            for x in sorted(held, key=lambda x: x.recorded_at):
+                if instant(x) <= p:
+                    seen[x.trade_date] = x
+            assert got[p] == (sum(x.available_at > p for x in seen.values()), len(seen))
+    with pytest.raises(ValueError, match="probes"):
+        pit.look_ahead_audit(a, KEY, spark.range(1001).select(F.timestamp_seconds("id").cast("timestamp_ntz").alias("probe")))
+
+
+def test_incremental_runs_touch_changed_series_only(spark):
+    day = lambda n: D(2020, 1, 1) + dt.timedelta(days=n)
+    rows = [(s, "feed", day(n), T(2020, 1, 1) + dt.timedelta(days=n), 1.0, 1) for s in ("1", "2") for n in range(900)]
+    flows = spark.createDataFrame(rows, "stock_id string, source string, trade_date date, recorded_at timestamp_ntz, net double, volume bigint")
+    prices = flows.select("stock_id", F.lit("board").alias("source"), "trade_date", "recorded_at", "volume")
+    new = spark.createDataFrame([("1", "feed", day(900), T(2023, 1, 1), 1.0, 1)], flows.schema)
+    found = derived.derived_datasets({"feed": "board"}, {"feed": "holders"})
+    inputs = {"institutional_flows": flows.unionByName(new), "daily_prices": prices.unionByName(new.select("stock_id", F.lit("board").alias("source"), "trade_date", "recorded_at", "volume"))}
+    held = flows.limit(0).select("stock_id", "source", "trade_date", "recorded_at", F.col("volume").alias("issued_shares"))
+    for name, column in (("institutional_streaks", "net_streak_days"), ("institutional_cumulative_flow", "net_cumulative_net")):
+        given = {k: v for k, v in {**inputs, "foreign_holdings": held}.items() if k in found[name].inputs}
+        before = {k: v.where("recorded_at < timestamp_ntz'2022-12-01 00:00:00'") for k, v in given.items()}
+        stored = derived.run(found[name], before, None, None, ts("2022-12-01 00:00:00"))
+        touched = derived.run(found[name], given, stored, ts("2022-12-01 00:00:00"), ts("2023-02-01 00:00:00"))
+        last = touched.orderBy(F.desc("trade_date")).first()
+        assert last[column] == 901 and {r.stock_id for r in touched.select("stock_id").distinct().collect()} == {"1"}
+        assert derived.merged(stored, touched).count() == 1801

@@ -6,6 +6,7 @@ from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions import instants
@@ -22,7 +23,12 @@ class Dataset:
     rule: Callable[[Column], Column] | None = None
     published: bool = False
     hidden: str | None = None
-    depends: tuple[str, ...] = ()
+
+    def day(self) -> Column:
+        """The date that a key is filed under: the period column, of a report the last day of its quarter."""
+        if "report_quarter" in self.keys:
+            return instants.quarter_end(F.col("report_year"), F.col("report_quarter"))
+        return F.col(self.period)
 
 
 def _type(kind: str) -> T.DataType:
@@ -68,18 +74,6 @@ def _observed() -> dict[str, Dataset]:
 
 OBSERVED = _observed()
 
-#: Derived datasets and what they read.
-DERIVED = {
-    "technical_indicators": ("daily_prices",),
-    "institutional_streaks": ("institutional_flows", "daily_prices"),
-    "institutional_cumulative_flow": ("institutional_flows", "foreign_holdings"),
-    "shareholding_concentration": ("shareholding_distributions",),
-    "margin_metrics": ("margin_trading",),
-    "short_interest_metrics": ("securities_lending",),
-    "valuation_metrics": ("daily_prices", "financial_reports"),
-}
-
-
 def dataset(name: str) -> Dataset:
     """The descriptor of an observed dataset; an unknown name is refused."""
     try:

@@ -33,9 +33,12 @@ def _(spark, d):
     return rounded(out.select(*KEY, *names), names)
 
 
-@query("metric_bollinger_rsv", days="trade_date", sql=f"""{with_('bars')}, x as (select *, case when count(close) over w = 20 then sum(close::decimal(28,6)) over w::double / 20 end as mid, case when count(close) over w = 20 then stddev_samp(close) over w end as dev,
+BANDS_SQL = f"""{with_('bars')}, x as (select *, case when count(close) over w = 20 then sum(close::decimal(28,6)) over w::double / 20 end as mid, case when count(close) over w = 20 then stddev_samp(close) over w end as dev,
     count(*) over v as n, min(low) over v as lo, max(high) over v as hi from bars window w as (partition by stock_id, source order by trade_date rows between 19 preceding and current row), v as (partition by stock_id, source order by trade_date rows between 8 preceding and current row))
-    select stock_id, source, trade_date, round(mid, 4) as bb_middle, round(mid + 2 * dev, 4) as bb_upper, round(mid - 2 * dev, 4) as bb_lower, round(case when n = 9 and hi > lo then (close - lo) / (hi - lo) * 100 else 50 end, 6) as rsv from x""")
+    select stock_id, source, trade_date, round(mid, 4) as bb_middle, round(mid + 2 * dev, 4) as bb_upper, round(mid - 2 * dev, 4) as bb_lower, round(case when n = 9 and hi > lo then (close - lo) / (hi - lo) * 100 else 50 end, 6) as rsv from x"""
+
+
+@query("metric_bollinger_rsv", days="trade_date", sql=BANDS_SQL)
 def _(spark, d):
     out = metrics.rsv(metrics.bollinger(bars(spark, d))).select(*KEY, "bb_middle", "bb_upper", "bb_lower", "rsv")
     return rounded(rounded(out, ["bb_middle", "bb_upper", "bb_lower"], 4), ["rsv"])
@@ -56,10 +59,20 @@ def _(spark, d):
     return rounded(metrics.recurrences(metrics.rsv(bars(spark, d))).select(*KEY, *names), names, 4)
 
 
-@query("metric_technical_panel")
+_RSI = f"""{with_('bars').replace('with ', 'with recursive ', 1)}, y as materialized (select stock_id, source, trade_date, row_number() over w as i, close - lag(close) over w as ch from bars window w as (partition by stock_id, source order by trade_date)),
+    r as (select stock_id, source, trade_date, i, 0.0::double as g6, 0.0::double as l6, 0.0::double as g12, 0.0::double as l12 from y where i = 1
+        union all select y.stock_id, y.source, y.trade_date, y.i, r.g6 * 5 / 6 + greatest(ch, 0), r.l6 * 5 / 6 + greatest(-ch, 0), r.g12 * 11 / 12 + greatest(ch, 0), r.l12 * 11 / 12 + greatest(-ch, 0) from r join y on y.stock_id = r.stock_id and y.source = r.source and y.i = r.i + 1)
+    select stock_id, source, trade_date, {', '.join(f"round(case when i > {n} and g{n} + l{n} > 0 then 100 * g{n} / (g{n} + l{n}) end, 4) as rsi{n}" for n in (6, 12))} from r"""
+#: The whole panel: windows, exponential means and RSI by their own queries, side by side.
+PANEL_SQL = f"""select a.stock_id, a.source, a.trade_date, {', '.join(f'round(a.{v}ma{n}, 4) as {v}ma{n}' for v in ('', 'v') for n in metrics.WINDOWS)}, b.k, b.d, c.rsi6, c.rsi12, b.macd_dif, b.macd_dea, b.macd_hist, e.bb_upper, e.bb_middle, e.bb_lower
+    from ({MOVING_SQL}) a join ({KD_SQL}) b using (stock_id, source, trade_date) join ({_RSI}) c using (stock_id, source, trade_date) join ({BANDS_SQL}) e using (stock_id, source, trade_date)"""
+
+
+@query("metric_technical_panel", days="trade_date", sql=PANEL_SQL)
 def technical_panel(spark, d):
-    """All 22 metrics; RSI and the exponential means are recurrences, held against a plain restatement in the tests."""
-    return rounded(metrics.technical_panel(bars(spark, d)), metrics.METRICS)
+    """All 22 metrics of every bar."""
+    panel = metrics.technical_panel(bars(spark, d))
+    return panel.select(*KEY, *[F.round(F.nanvl(m, F.lit(None).cast("double")), 4).alias(m) for m in metrics.METRICS])
 
 
 STREAKS_SQL = f"""{with_('flows')}, x as (select *, coalesce(sign(net), 0) as s from flows where volume > 0), y as (select *, case when s <> coalesce(lag(s) over w, 9) then 1 else 0 end as b from x window w as (partition by stock_id, source order by trade_date)),

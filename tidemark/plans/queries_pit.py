@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions import instants
-from tidemark.operators import append, metrics, pit, rolling
+from tidemark.datasets import Dataset, dataset
+from tidemark.operators import append, derived, metrics, pit, reads, rolling
 from tidemark.plans.panels import actions, facts, reports, table, versions, with_
 from tidemark.plans.registry import query
+from tidemark.sources import tables
 
 KEY = ["stock_id", "source", "trade_date"]
 SERIES = ["stock_id", "source"]
@@ -345,3 +349,77 @@ def _(spark, d):
     older = whole.withColumn("fetched_at", F.col("fetched_at") - F.expr("interval 1 day")).withColumn("stock_ids", F.array().cast("array<string>"))
     spans = e.select(F.col("user_id").cast("string").alias("stock_id"), F.lit("2024-01-05").cast("date").alias("listed_on"), F.when(F.col("user_id") % 2 == 0, F.lit("2024-01-20").cast("date")).alias("delisted_on")).distinct()
     return append.latest_payload_listing(whole.unionByName(older), spans)
+
+
+ARRIVED = dt.datetime(2024, 6, 1, tzinfo=dt.UTC)
+#: The version panel as a dataset.
+PANEL = Dataset("panel", dataset("daily_prices").schema, tuple(KEY), "trade_date", DAILY)
+
+
+@query("read_market_context", days="trade_date", sql=f"""{with_('available')} select stock_id, source, trade_date, recorded_at, close, volume, available_at from available
+    where stock_id in ('1', '2', '3', '5') and source = 'beta' and trade_date between date '1996-01-01' and date '1998-12-31' and available_at <= timestamp '{AT}' and recorded_at <= timestamp '1998-06-01 00:00:00'
+    qualify row_number() over (partition by stock_id, source, trade_date order by recorded_at desc) = 1""")
+def _(spark, d):
+    """A read by descriptor at two instants given with different offsets, narrowed by range, stocks and source."""
+    at = reads.context(ARRIVED, information_as_of="1998-06-30T20:00:00+08:00", knowledge_as_of="1998-06-01T00:00:00Z")
+    return reads.visible(versions(spark, d), PANEL, at, dt.date(1996, 1, 1), dt.date(1998, 12, 31), ["1", "2", "3", "5"], ["beta"])
+
+
+@query("read_system_context", days="trade_date", sql=f"""{with_('available')} select stock_id, source, trade_date, recorded_at, close, volume, available_at from available
+    where recorded_at <= timestamp '{AT}' qualify row_number() over (partition by stock_id, source, trade_date order by recorded_at desc) = 1""")
+def _(spark, d):
+    return reads.visible(versions(spark, d), PANEL, reads.context(ARRIVED, system_as_of="1998-06-30T12:00:00+00:00"))
+
+
+@query("read_reports_context", days="", sql=f"""{with_('reports')}, a as (select *, case when recorded_at = min(recorded_at) over (partition by stock_id, report_year, report_quarter) then published_at else recorded_at end as available_at from reports
+    where last_day(make_date(report_year, report_quarter * 3, 1)) between date '1996-03-31' and date '1998-06-30') select id, stock_id, report_year, report_quarter, recorded_at, available_at from a
+    where available_at <= timestamp '1998-03-01' qualify row_number() over (partition by stock_id, report_year, report_quarter order by recorded_at desc) = 1""")
+def _(spark, d):
+    """Reports are filed under the last day of their quarter and public as published."""
+    at = reads.context(ARRIVED, information_as_of="1998-03-01T00:00:00+00:00")
+    found = reads.visible(reports(spark, d), dataset("financial_reports"), at, dt.date(1996, 3, 31), dt.date(1998, 6, 30))
+    return found.select("id", *REPORT, "recorded_at", "available_at")
+
+
+@query("read_derived_context", days="trade_date", sql=f"""{with_('available')}{_DERIVED}, x as (select stock_id, source, trade_date, greatest(trade_date::timestamp + interval 19 hour, max(late_at) over (partition by stock_id, source order by trade_date)) as available_at from days left join late using (stock_id, source, trade_date))
+    select * from x where available_at <= timestamp '{AT}' and trade_date >= date '1996-01-01'""")
+def _(spark, d):
+    """Stored rows of a derived dataset that were public at an instant: none before the latest correction of its inputs."""
+    v = versions(spark, d)
+    dataset_ = derived.derived_datasets({}, {})["technical_indicators"]
+    at = reads.context(ARRIVED, information_as_of="1998-06-30T12:00:00+00:00")
+    return reads.derived_rows(v.select(*KEY).distinct(), dataset_, {"daily_prices": (v, PANEL)}, at, ARRIVED, dt.date(1996, 1, 1))
+
+
+@query("store_append_and_read", days="trade_date", sql="""with o as (select distinct o_custkey::varchar as stock_id, case when o_custkey % 2 = 0 then 'alpha' else 'beta' end as source, o_orderdate::date as trade_date, (o_custkey % 30)::varchar as industry_code from orders)
+    select *, timestamp '2024-01-06 00:00:00' as recorded_at, 'f' || (case when trade_date < date '1997-01-01' then 1 else 2 end)::varchar as fetch_id from o where trade_date between date '1996-01-01' and date '1998-12-31'""")
+def _(spark, d):
+    """Rows of all orders appended to a stored dataset in two batches and read back by key date."""
+    c = F.col("o_custkey")
+    o = table(spark, d, "orders").select(c.cast("string").alias("stock_id"), F.when(c % 2 == 0, "alpha").otherwise("beta").alias("source"), F.col("o_orderdate").cast("date").alias("trade_date"), (c % 30).cast("string").alias("industry_code")).distinct()
+    root = tables.scratch_folder(spark, "store")
+    for fetch, part in (("f1", F.col("trade_date") < "1997-01-01"), ("f2", F.col("trade_date") >= "1997-01-01")):
+        tables.append_rows(o.where(part), root, "industry_observations", "2024-01-06 00:00:00", fetch)
+    return tables.read_table(spark, root, "industry_observations", "1996-01-01", "1998-12-31")
+
+
+@query("fetch_pending_reports", f"""with l as (select o_custkey % 100 as s, year(o_orderdate) as y, quarter(o_orderdate) as q, count(*) as n from orders group by 1, 2, 3), e as (select s::varchar as stock_id, y as report_year, q as report_quarter, n, s * 100000 + y * 10 + q as k from l),
+    x as (select *, k % 4 = 0 or (k % 7 = 0 and k % 3 = 0) or (k % 11 = 0 and k % 7 <> 0) as done from e) select stock_id, report_year, report_quarter from x where not done""")
+def _(spark, d):
+    """Report quarters that neither of their two report ids has fetched: one succeeds after the quarter settled, one is of a final kind."""
+    o = table(spark, d, "orders")
+    e = o.groupBy((F.col("o_custkey") % 100).alias("s"), F.year("o_orderdate").alias("report_year"), F.quarter("o_orderdate").alias("report_quarter")).agg(F.count("*").alias("n"))
+    k = F.col("s") * 100000 + F.col("report_year") * 10 + F.col("report_quarter")
+    settled = instants.quarter_end(F.col("report_year"), F.col("report_quarter")).cast("timestamp_ntz") + F.expr("interval 60 days")
+    e = e.select(F.col("s").cast("string").alias("stock_id"), "report_year", "report_quarter", k.alias("k"), settled.alias("settled_at"), F.lit("reports").alias("dataset"), F.lit("feed").alias("source"), F.concat(F.lit("C/"), k.cast("string")).alias("consolidated"), F.concat(F.lit("A/"), k.cast("string")).alias("individual"))
+    log = lambda key, status, reason, hours: F.struct(F.col(key).alias("resource_key"), F.lit(status).alias("status"), F.lit(reason).cast("string").alias("reason_code"), (F.col("settled_at") + F.expr(f"interval {hours} hours")).alias("fetched_at"))
+    none = F.array().cast("array<struct<resource_key: string, status: string, reason_code: string, fetched_at: timestamp_ntz>>")
+    when = lambda condition, *entries: F.when(condition, F.array(*entries)).otherwise(none)
+    c = F.col("k")
+    entries = F.concat(
+        when(c % 4 == 0, log("consolidated", "succeeded", None, 5)), when((c % 7 == 0) & (c % 3 == 0), log("individual", "succeeded", None, 0)),
+        when(c % 7 == 1, log("individual", "succeeded", None, -5)), when(c % 11 == 0, log("individual", "quarantined", "outside_universe", 1)), when(c % 13 == 0, log("consolidated", "empty", None, 1)),
+    )
+    fetches_ = e.select("dataset", "source", F.explode(entries).alias("f"), F.lit(1).alias("attempt")).select("dataset", "source", "f.*", "attempt")
+    latest = fetches_.where("not (resource_key like 'C/%' and status = 'empty' and cast(substring(resource_key, 3) as bigint) % 4 = 0)").where("not (resource_key like 'A/%' and status = 'quarantined' and cast(substring(resource_key, 3) as bigint) % 7 = 0)")
+    return append.pending_any(e, latest, ["consolidated", "individual"], final=["outside_universe"]).select("stock_id", "report_year", "report_quarter")

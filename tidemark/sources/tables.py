@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import re
+import tempfile
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,6 +24,18 @@ def read_table(spark: SparkSession, root: str, name: str, start: str | None = No
     return df.where(F.col(d.period) <= F.lit(end).cast(d.schema[d.period].dataType)) if end else df
 
 
+def scratch_folder(spark: SparkSession, name: str) -> str:
+    """A fresh path under the folder that driver and executors share (``spark.checkpoint.dir``); on a local master without
+    one a temporary folder is set, on a cluster its absence is an error."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not base:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="spark-shared-"))
+        base = spark.sparkContext.getCheckpointDir()
+    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
 def append_rows(rows: DataFrame, root: str, name: str, recorded_at: str, fetch_id: str) -> None:
     """Append rows stamped with one batch instant and fetch (A13); the stamp is a literal, so every row bears the same.
 
