@@ -23,14 +23,21 @@ def ts(text):
 
 def versions(spark, rows):
     """(day of January 2024, recorded_at, close)"""
-    return spark.createDataFrame([("1", "a", D(2024, 1, d), r, float(c)) for d, r, c in rows], "stock_id string, source string, trade_date date, recorded_at timestamp_ntz, close double")
+    return spark.createDataFrame(
+        [("1", "a", D(2024, 1, d), r, float(c)) for d, r, c in rows],
+        "stock_id string, source string, trade_date date, recorded_at timestamp_ntz, close double",
+    )
 
 
 def test_visibility_of_provisional_settled_and_correction(spark):
     released = T(2024, 1, 2, 19)
-    v = versions(spark, [(2, released - dt.timedelta(hours=1), 1), (2, released, 2), (2, released + dt.timedelta(days=3), 3)])
+    v = versions(
+        spark, [(2, released - dt.timedelta(hours=1), 1), (2, released, 2), (2, released + dt.timedelta(days=3), 3)]
+    )
     a = pit.with_available_at(v, KEY, "trade_date", instants.exchange_daily_settled)
-    assert [r.available_at for r in a.orderBy("recorded_at").collect()] == [released, released, released + dt.timedelta(days=3)]
+    assert [r.available_at for r in a.orderBy("recorded_at").collect()] == [
+        released, released, released + dt.timedelta(days=3)
+    ]
 
     def seen(info, know="2100-01-01"):
         return [r.close for r in pit.market_pit(a, KEY, ts(str(info)), ts(know)).collect()]
@@ -44,16 +51,27 @@ def test_visibility_of_provisional_settled_and_correction(spark):
 
 
 def test_retraction_hides_the_key(spark):
-    rows = [("1", "a", D(2024, 3, 5), T(2024, 3, 1), 1.0, False), ("1", "a", D(2024, 3, 5), T(2024, 3, 3), 1.0, True), ("1", "a", D(2024, 3, 7), T(2024, 3, 6, 16), 2.0, False), ("1", "a", D(2024, 3, 7), T(2024, 3, 9), 2.0, True)]
-    v = spark.createDataFrame(rows, "stock_id string, source string, ex_date date, recorded_at timestamp_ntz, x double, retracted boolean")
+    rows = [
+        ("1", "a", D(2024, 3, 5), T(2024, 3, 1), 1.0, False),
+        ("1", "a", D(2024, 3, 5), T(2024, 3, 3), 1.0, True),
+        ("1", "a", D(2024, 3, 7), T(2024, 3, 6, 16), 2.0, False),
+        ("1", "a", D(2024, 3, 7), T(2024, 3, 9), 2.0, True),
+    ]
+    v = spark.createDataFrame(
+        rows, "stock_id string, source string, ex_date date, recorded_at timestamp_ntz, x double, retracted boolean"
+    )
     key = ["stock_id", "source", "ex_date"]
     a = pit.with_available_at(v, key, "ex_date", instants.ex_date_midnight)
-    see = lambda at: [r.ex_date.day for r in pit.market_pit(a, key, ts(at), ts("2100-01-01"), hidden="retracted").collect()]
+    see = lambda at: [
+        r.ex_date.day for r in pit.market_pit(a, key, ts(at), ts("2100-01-01"), hidden="retracted").collect()
+    ]
     assert see("2024-03-05 00:00:00") == [] and see("2024-03-08 00:00:00") == [7] and see("2024-03-10 00:00:00") == []
 
 
 def test_unpublished_first_row_and_later_correction(spark):
-    rows = [("1", T(2024, 1, 1), None, 1), ("1", T(2024, 2, 1), T(2024, 1, 5), 2), ("2", T(2024, 1, 1), T(2023, 12, 30), 1)]
+    rows = [
+        ("1", T(2024, 1, 1), None, 1), ("1", T(2024, 2, 1), T(2024, 1, 5), 2), ("2", T(2024, 1, 1), T(2023, 12, 30), 1)
+    ]
     v = spark.createDataFrame(rows, "stock_id string, recorded_at timestamp_ntz, published_at timestamp_ntz, x int")
     got = {(r.stock_id, r.x): r.available_at for r in pit.with_published_at(v, ["stock_id"]).collect()}
     assert got == {("1", 1): None, ("1", 2): T(2024, 2, 1), ("2", 1): T(2023, 12, 30)}
@@ -68,7 +86,17 @@ def test_rolling_as_of_equals_recomputing_every_date(spark):
             rows.append((d, T(2024, 1, d, 20) + dt.timedelta(hours=r.randint(1, 300)), r.randint(1, 99)))
     rows = list({(d, t): (d, t, c) for d, t, c in rows}.values())
     a = pit.with_available_at(versions(spark, rows), KEY, "trade_date", instants.exchange_daily_settled)
-    got = {x.trade_date.day: x.s for x in pit.rolling_as_of(a, SERIES, "trade_date", instants.exchange_daily_settled, lambda df, by: metrics.cumulative_flow(df, "close", by, "trade_date", "s").select(*by, "trade_date", "s")).collect()}
+    got = {
+        x.trade_date.day: x.s
+        for x
+        in pit.rolling_as_of(
+            a,
+            SERIES,
+            "trade_date",
+            instants.exchange_daily_settled,
+            lambda df, by: metrics.cumulative_flow(df, "close", by, "trade_date", "s").select(*by, "trade_date", "s"),
+        ).collect()
+    }
     avail = a.collect()
     for d in range(1, 29):
         cutoff = T(2024, 1, d, 19)
@@ -83,11 +111,14 @@ def test_rolling_as_of_equals_recomputing_every_date(spark):
 
 def test_weekly_rule_waits_from_a_sunday(spark):
     d = spark.createDataFrame([(D(2024, 1, 6),), (D(2024, 1, 7),)], "d date")
-    assert [r[0] for r in d.select(instants.weekly_sunday_noon(F.col("d"))).collect()] == [T(2024, 1, 7, 4), T(2024, 1, 14, 4)]
+    assert [
+        r[0] for r in d.select(instants.weekly_sunday_noon(F.col("d"))).collect()
+    ] == [T(2024, 1, 7, 4), T(2024, 1, 14, 4)]
 
 
 def plain_ewm(values, alpha, adjust, min_periods):
-    """Weights (1 - alpha)^age over observations; without adjustment the first observation keeps the whole remaining weight."""
+    """Weights (1 - alpha)^age over observations; without adjustment the first observation keeps the whole remaining
+    weight."""
     out, seen = [], 0
     for i, v in enumerate(values):
         seen += v is not None
@@ -111,8 +142,21 @@ def test_indicators_equal_plain_restatement(spark):
     r = random.Random(6)
     close = [None if r.random() < 0.15 else round(50 + r.gauss(0, 5), 2) for _ in range(60)]
     close[30:45] = [20.0] * 15
-    rows = [("1", "a", D(2024, 1, 1) + dt.timedelta(days=i), None if c is None else c + 1.0, None if c is None else c - 1.0, c, i + 1) for i, c in enumerate(close)]
-    bars = spark.createDataFrame(rows, "stock_id string, source string, trade_date date, high double, low double, close double, volume bigint")
+    rows = [
+        (
+            "1",
+            "a",
+            D(2024, 1, 1) + dt.timedelta(days=i),
+            None if c is None else c + 1.0,
+            None if c is None else c - 1.0,
+            c,
+            i + 1,
+        )
+        for i, c in enumerate(close)
+    ]
+    bars = spark.createDataFrame(
+        rows, "stock_id string, source string, trade_date date, high double, low double, close double, volume bigint"
+    )
     got = metrics.technical_panel(bars).orderBy("trade_date").collect()
 
     def same(name, want):
@@ -139,7 +183,13 @@ def test_indicators_equal_plain_restatement(spark):
         up = [None] + [None if a is None or b is None else max(b - a, 0.0) for a, b in zip(close, close[1:])]
         down = [None] + [None if a is None or b is None else max(a - b, 0.0) for a, b in zip(close, close[1:])]
         g, l = plain_ewm(up, 1 / n, True, n), plain_ewm(down, 1 / n, True, n)
-        same(f"rsi{n}", [None if a is None or b is None else (None if a == 0 else 100.0) if b == 0 else 100 - 100 / (1 + a / b) for a, b in zip(g, l)])
+        same(
+            f"rsi{n}",
+            [
+                None if a is None or b is None else (None if a == 0 else 100.0) if b == 0 else 100 - 100 / (1 + a / b)
+                for a, b in zip(g, l)
+            ],
+        )
     ma = [sum(close[i - 4 : i + 1]) / 5 if i >= 4 and None not in close[i - 4 : i + 1] else None for i in range(60)]
     same("ma5", ma)
     # Causality: a later input changes no earlier value.
@@ -148,9 +198,17 @@ def test_indicators_equal_plain_restatement(spark):
 
 
 def test_adjustment_poison_same_day_and_anchor(spark):
-    bars = spark.createDataFrame([("1", "a", D(2024, 1, d), 10.0) for d in range(1, 8)], "stock_id string, source string, trade_date date, close double")
-    ev = lambda rows: spark.createDataFrame([("1", "a", D(2024, 1, d), f) for d, f in rows], "stock_id string, source string, ex_date date, event_factor double")
-    factors = lambda rows: [r.factor for r in metrics.cumulative_factors(bars, ev(rows)).orderBy("trade_date").collect()]
+    bars = spark.createDataFrame(
+        [("1", "a", D(2024, 1, d), 10.0) for d in range(1, 8)],
+        "stock_id string, source string, trade_date date, close double",
+    )
+    ev = lambda rows: spark.createDataFrame(
+        [("1", "a", D(2024, 1, d), f) for d, f in rows],
+        "stock_id string, source string, ex_date date, event_factor double",
+    )
+    factors = lambda rows: [
+        r.factor for r in metrics.cumulative_factors(bars, ev(rows)).orderBy("trade_date").collect()
+    ]
     assert factors([(3, 0.5), (3, 0.8), (6, 0.9), (20, 0.1)]) == pytest.approx([0.36, 0.36, 0.9, 0.9, 0.9, 1, 1])
     assert factors([(3, 0.5), (5, None)]) == [None, None, None, None, 1.0, 1.0, 1.0]
     assert factors([]) == [1.0] * 7
@@ -158,53 +216,106 @@ def test_adjustment_poison_same_day_and_anchor(spark):
 
 def test_quarters_without_third_and_late_third(spark):
     reports, facts = [], []
-    for i, (year, q, on) in enumerate([(2023, 1, D(2023, 5, 1)), (2023, 2, D(2023, 8, 1)), (2023, 3, D(2024, 5, 1)), (2023, 4, D(2024, 3, 1)), (2022, 4, D(2023, 3, 1))]):
+    for i, (year, q, on) in enumerate(
+        [
+            (2023, 1, D(2023, 5, 1)),
+            (2023, 2, D(2023, 8, 1)),
+            (2023, 3, D(2024, 5, 1)),
+            (2023, 4, D(2024, 3, 1)),
+            (2022, 4, D(2023, 3, 1)),
+        ]
+    ):
         reports.append((i, "1", year, q, "consolidated", T(on.year, on.month, on.day), T(on.year, on.month, on.day)))
         end = D(year, q * 3, {1: 31, 2: 30, 3: 30, 4: 31}[q])
-        facts += [(i, "income_statement", "9750", D(year, q * 3 - 2, 1), end, 1), (i, "income_statement", "9750", D(year, 1, 1), end, q), (i, "balance_sheet", "31XX", None, end, 100)]
-    r = spark.createDataFrame(reports, "id bigint, stock_id string, report_year int, report_quarter int, report_category string, published_at timestamp_ntz, recorded_at timestamp_ntz")
-    f = spark.createDataFrame(facts, "report_id bigint, statement string, account_code string, period_start date, period_end date, value bigint")
+        facts += [
+            (i, "income_statement", "9750", D(year, q * 3 - 2, 1), end, 1),
+            (i, "income_statement", "9750", D(year, 1, 1), end, q),
+            (i, "balance_sheet", "31XX", None, end, 100),
+        ]
+    r = spark.createDataFrame(
+        reports,
+        "id bigint, stock_id string, report_year int, report_quarter int, report_category string, published_at timestamp_ntz, recorded_at timestamp_ntz",
+    )
+    f = spark.createDataFrame(
+        facts,
+        "report_id bigint, statement string, account_code string, period_start date, period_end date, value bigint",
+    )
     quarters = valuation.quarter_values(valuation.report_inputs(r, f))
     got = {(x.report_year, x.report_quarter): (x.eps, x.published_on) for x in quarters.collect()}
     assert got[2022, 4][0] is None and got[2023, 4] == (1, D(2024, 5, 1)) and got[2023, 1] == (1, D(2023, 5, 1))
-    days = spark.createDataFrame([("1", "a", D(2024, 4, 1), 8.0), ("1", "a", D(2024, 5, 1), 8.0), ("1", "a", D(2024, 5, 2), None)], "stock_id string, source string, trade_date date, close double")
+    days = spark.createDataFrame(
+        [("1", "a", D(2024, 4, 1), 8.0), ("1", "a", D(2024, 5, 1), 8.0), ("1", "a", D(2024, 5, 2), None)],
+        "stock_id string, source string, trade_date date, close double",
+    )
     v = valuation.valuation_metrics(days, quarters).orderBy("trade_date").collect()
     assert [(x.trade_date, x.ttm_eps, x.pe_ratio) for x in v][0] == (D(2024, 5, 1), 4.0, 2.0) and len(v) == 2
 
 
 def test_append_keeps_a_b_a(spark):
-    stored = spark.createDataFrame([("k", T(2024, 1, 1), 1), ("k", T(2024, 1, 2), 2)], "k string, recorded_at timestamp_ntz, v int")
-    incoming = spark.createDataFrame([("k", T(2024, 1, 3), 1), ("n", T(2024, 1, 3), None)], "k string, recorded_at timestamp_ntz, v int")
+    stored = spark.createDataFrame(
+        [("k", T(2024, 1, 1), 1), ("k", T(2024, 1, 2), 2)], "k string, recorded_at timestamp_ntz, v int"
+    )
+    incoming = spark.createDataFrame(
+        [("k", T(2024, 1, 3), 1), ("n", T(2024, 1, 3), None)], "k string, recorded_at timestamp_ntz, v int"
+    )
     assert {r.k for r in append.append_changed(incoming, stored, ["k"], ["v"]).collect()} == {"k", "n"}
     assert append.append_changed(incoming.where("k = 'k'").withColumn("v", F.lit(2)), stored, ["k"], ["v"]).count() == 0
 
 
 def test_period_end_is_hidden_until_public(spark):
-    s = spark.createDataFrame([("1", "sii", D(2020, 1, 1), None)], "stock_id string, market string, listed_on date, delisted_on date")
-    changes = spark.createDataFrame([("1", "n", D(2023, 7, 1), D(2023, 6, 20), "01", "02", T(2023, 6, 20, 17)), ("1", "n", D(2023, 7, 1), D(2023, 6, 20), "01", "03", T(2023, 6, 25))], "stock_id string, source string, effective_date date, announced_on date, old_industry string, new_industry string, recorded_at timestamp_ntz")
-    none = spark.createDataFrame([], "stock_id string, market string, listed_on date, delisted_on date, anchor_code string, anchor_on date")
-    cats = spark.createDataFrame([(c, "sii", None, None, D(2021, 1, 1) if c == "01" else None) for c in ("01", "02", "03")], "code string, market string, valid_from date, valid_to date, renamed_on date")
+    s = spark.createDataFrame(
+        [("1", "sii", D(2020, 1, 1), None)], "stock_id string, market string, listed_on date, delisted_on date"
+    )
+    changes = spark.createDataFrame(
+        [
+            ("1", "n", D(2023, 7, 1), D(2023, 6, 20), "01", "02", T(2023, 6, 20, 17)),
+            ("1", "n", D(2023, 7, 1), D(2023, 6, 20), "01", "03", T(2023, 6, 25)),
+        ],
+        "stock_id string, source string, effective_date date, announced_on date, old_industry string, new_industry string, recorded_at timestamp_ntz",
+    )
+    none = spark.createDataFrame(
+        [], "stock_id string, market string, listed_on date, delisted_on date, anchor_code string, anchor_on date"
+    )
+    cats = spark.createDataFrame(
+        [(c, "sii", None, None, D(2021, 1, 1) if c == "01" else None) for c in ("01", "02", "03")],
+        "code string, market string, valid_from date, valid_to date, renamed_on date",
+    )
     v = spans.change_versions(changes)
 
     def see(at):
         p = spans.category_periods(s, v, none, cats, ts(at), ts("2100-01-01"), ts("2020-12-01"))
-        return [(r.industry_code, r.basis, r.effective_from, r.effective_to) for r in p.orderBy("effective_from").collect()]
+        return [
+            (r.industry_code, r.basis, r.effective_from, r.effective_to) for r in p.orderBy("effective_from").collect()
+        ]
 
-    assert see("2023-06-19 00:00:00") == [("01", "before_change", D(2020, 1, 1), D(2021, 1, 1)), ("01", "rename", D(2021, 1, 1), None)]
+    assert see("2023-06-19 00:00:00") == [
+        ("01", "before_change", D(2020, 1, 1), D(2021, 1, 1)), ("01", "rename", D(2021, 1, 1), None)
+    ]
     assert see("2023-06-21 00:00:00")[-1] == ("02", "change", D(2023, 7, 1), None)
-    assert see("2023-06-26 00:00:00")[-2:] == [("01", "rename", D(2021, 1, 1), D(2023, 7, 1)), ("03", "change", D(2023, 7, 1), None)]
+    assert see("2023-06-26 00:00:00")[-2:] == [
+        ("01", "rename", D(2021, 1, 1), D(2023, 7, 1)), ("03", "change", D(2023, 7, 1), None)
+    ]
 
 
 def test_tolerance(spark):
     row = spark.createDataFrame([(1.0, 1.0 + 5e-7, 100.0, None)], "a double, b double, s double, n double")
     c = [F.col(x) for x in "absn"]
-    got = row.select(incremental.within_tolerance("k", c[0], c[1], c[2]), incremental.within_tolerance("ma5", c[0], c[1], c[2]), incremental.within_tolerance("macd_dif", c[0], c[1], c[2]), incremental.within_tolerance("ma5", c[3], c[3], c[2]), incremental.within_tolerance("k", c[0], c[3], c[2])).first()
+    got = row.select(
+        incremental.within_tolerance("k", c[0], c[1], c[2]),
+        incremental.within_tolerance("ma5", c[0], c[1], c[2]),
+        incremental.within_tolerance("macd_dif", c[0], c[1], c[2]),
+        incremental.within_tolerance("ma5", c[3], c[3], c[2]),
+        incremental.within_tolerance("k", c[0], c[3], c[2]),
+    ).first()
     assert list(got) == [True, False, True, True, False]
 
 
 def test_table_sinks(spark, tmp_path):
     schema = dataset("industry_observations").schema
-    rows = spark.createDataFrame([("1", "a", D(2024, 1, 2), "01"), ("2", "a", D(2024, 1, 5), "02")], "stock_id string, source string, trade_date date, industry_code string")
+    rows = spark.createDataFrame(
+        [("1", "a", D(2024, 1, 2), "01"), ("2", "a", D(2024, 1, 5), "02")],
+        "stock_id string, source string, trade_date date, industry_code string",
+    )
     tables.append_rows(rows, str(tmp_path), "industry_observations", "2024-01-06 00:00:00", "f1")
     tables.append_rows(rows.limit(1), str(tmp_path), "industry_observations", "2024-01-07 00:00:00", "f2")
     back = tables.read_table(spark, str(tmp_path), "industry_observations", "2024-01-01", "2024-01-03")
@@ -217,7 +328,9 @@ def test_table_sinks(spark, tmp_path):
     assert all(set(d.keys) <= set(d.schema.names) for d in OBSERVED.values())
     part = rows.withColumn("day", F.col("trade_date").cast("string"))
     tables.overwrite_series(part, f"{tmp_path}/p", "day")
-    tables.overwrite_series(part.where("stock_id = '1'").withColumn("industry_code", F.lit("09")), f"{tmp_path}/p", "day")
+    tables.overwrite_series(
+        part.where("stock_id = '1'").withColumn("industry_code", F.lit("09")), f"{tmp_path}/p", "day"
+    )
     assert {r.industry_code for r in spark.read.parquet(f"{tmp_path}/p").collect()} == {"09", "02"}
 
 
@@ -228,30 +341,57 @@ def test_refusals(spark):
     with pytest.raises(Exception, match="not finite"):
         tables.export_json(spark.sql("select double('NaN') as x")).collect()
     with pytest.raises(Exception, match="unknown institution"):
-        panel.flow_panel(spark.createDataFrame([("s", D(2024, 1, 1), "moon", 1)], "source string, trade_date date, institution string, net int"), ["a"]).collect()
+        panel.flow_panel(
+            spark.createDataFrame(
+                [("s", D(2024, 1, 1), "moon", 1)], "source string, trade_date date, institution string, net int"
+            ),
+            ["a"],
+        ).collect()
 
 
 def test_html_and_subjects(spark):
-    page = spark.createDataFrame([(1, "<table><tr><th>h</th></tr><tr><td>a<br>b</td><td>1&amp;2</td></tr><tr><td>x</td></tr></table>")], "page_id int, html string")
+    page = spark.createDataFrame(
+        [(1, "<table><tr><th>h</th></tr><tr><td>a<br>b</td><td>1&amp;2</td></tr><tr><td>x</td></tr></table>")],
+        "page_id int, html string",
+    )
     got = payloads.html_table_rows(page, "page_id", cells=2).orderBy("row_no").collect()
     assert [(r.cells, r.violation) for r in got] == [(["a\nb", "1&2"], None), (["x"], "cell_count")]
-    odd = spark.createDataFrame([(1, "<tr><td>&#12288;x&#x4E2D;</td><td></td></tr><tr></tr>")], "page_id int, html string")
+    odd = spark.createDataFrame(
+        [(1, "<tr><td>&#12288;x&#x4E2D;</td><td></td></tr><tr></tr>")], "page_id int, html string"
+    )
     assert [r.cells for r in payloads.html_table_rows(odd, "page_id").orderBy("row_no").collect()] == [["x中", ""], []]
     texts = ["&#12288;a&mdash;b&nbsp;", "x &amp;lt; &copy y", "<p>one</p>two<br/>", None, "plain"]
     got = spark.createDataFrame([(t,) for t in texts], "t string").select(scalar.html_text(F.col("t"))).collect()
     assert [r[0] for r in got] == ["a—b", "x &lt; © y", "one\ntwo", None, "plain"]
-    subjects = {"修正要點": "regulation", "興櫃公司": "out_of_scope", "上櫃及興櫃": "change", "創櫃板": "out_of_scope", "上（興）櫃": "change", "產業類別": "change"}
+    subjects = {
+        "修正要點": "regulation",
+        "興櫃公司": "out_of_scope",
+        "上櫃及興櫃": "change",
+        "創櫃板": "out_of_scope",
+        "上（興）櫃": "change",
+        "產業類別": "change",
+    }
     s = spark.createDataFrame([(t,) for t in subjects], "s string")
     assert [r[0] for r in s.select(payloads.subject_class(F.col("s"))).collect()] == list(subjects.values())
 
 
 def test_amounts(spark):
     cases = {
-        ("12.5", None, -2): (0.125, False), ("(1,234)", None, 3): (-1234000.0, False), ("5", "-", None): (-5.0, False),
-        ("(5)", "-", None): (None, True), ("(5)", "+", None): (None, True), ("5", "+", 0): (None, True), ("-", None, None): (None, False),
-        ("n/a", "+", None): (None, False), ("see note", None, 1): (None, False), ("a long narrative", None, 1): (None, True),
-        ("NaN", None, None): (None, True), ("Infinity", None, None): (None, True), ("1 000", None, 0): (1000.0, False), ("0.000001", None, -6): (1e-12, False),
-    }
+        ("12.5", None, -2): (0.125, False),
+        ("(1,234)", None, 3): (-1234000.0, False),
+        ("5", "-", None): (-5.0, False),
+        ("(5)", "-", None): (None, True),
+        ("(5)", "+", None): (None, True),
+        ("5", "+", 0): (None, True),
+        ("-", None, None): (None, False),
+        ("n/a", "+", None): (None, False),
+        ("see note", None, 1): (None, False),
+        ("a long narrative", None, 1): (None, True),
+        ("NaN", None, None): (None, True),
+        ("Infinity", None, None): (None, True),
+        ("1 000", None, 0): (1000.0, False),
+        ("0.000001", None, -6): (1e-12, False),
+    }
     rows = spark.createDataFrame(list(cases), "t string, s string, p int")
     got = rows.select(scalar.accounting_amount(F.col("t"), F.col("s"), F.col("p")).alias("a")).select("a.*").collect()
     assert [(None if r.value is None else float(r.value), r.bad) for r in got] == list(cases.values())
@@ -260,9 +400,21 @@ def test_amounts(spark):
 def test_truncation_is_judged_by_file(spark):
     rows = [("f1", c, i, lv) for i, c in enumerate("ab") for lv in range(1, 18) if not (c == "b" and lv > 9)]
     rows += [("f2", c, i, lv) for i, c in enumerate("xyz") for lv in range(1, 18) if not (c == "y" and lv == 3)]
-    levels = spark.createDataFrame([(f, c, i, lv, 1, 1, 5.0) for f, c, i, lv in rows], "file string, code string, at int, level int, holders int, shares int, percent double")
-    got = {r.code: (r.violation, r.truncated) for r in validate.level_completeness(levels, ["file", "code"], "at", file=["file"]).collect()}
-    assert got == {"a": (None, True), "b": ("missing_level", True), "x": (None, False), "y": ("missing_level", False), "z": (None, False)}
+    levels = spark.createDataFrame(
+        [(f, c, i, lv, 1, 1, 5.0) for f, c, i, lv in rows],
+        "file string, code string, at int, level int, holders int, shares int, percent double",
+    )
+    got = {
+        r.code: (r.violation, r.truncated)
+        for r in validate.level_completeness(levels, ["file", "code"], "at", file=["file"]).collect()
+    }
+    assert got == {
+        "a": (None, True),
+        "b": ("missing_level", True),
+        "x": (None, False),
+        "y": ("missing_level", False),
+        "z": (None, False),
+    }
 
 
 def test_lineage_to_the_microsecond(spark):
@@ -282,8 +434,15 @@ def test_announcements(spark):
     two = "自109年2月1日起實施，實施日期：109年3月1日，代號 12349B 由「甲」改為「乙」"
     whole = "興櫃公司 代號1111由「A」改為「B」實施日期：109年2月1日"
     notices = spark.createDataFrame([(1, text), (2, two), (3, whole), (4, None)], "n int, text string")
-    got = sorted((r.n, r.stock_id, r.old_industry, r.new_industry, r.effective_date, r.violation) for r in payloads.announcement_changes(notices, "n").collect())
-    assert got == [(1, "1234A", "甲", "乙", D(2020, 2, 1), None), (1, "8000", "K", "L", D(2020, 2, 1), None), (2, "12349B", "甲", "乙", None, "effective_date_not_unique")]
+    got = sorted(
+        (r.n, r.stock_id, r.old_industry, r.new_industry, r.effective_date, r.violation)
+        for r in payloads.announcement_changes(notices, "n").collect()
+    )
+    assert got == [
+        (1, "1234A", "甲", "乙", D(2020, 2, 1), None),
+        (1, "8000", "K", "L", D(2020, 2, 1), None),
+        (2, "12349B", "甲", "乙", None, "effective_date_not_unique"),
+    ]
     assert payloads.announcement_changes(notices, "n", scoped=False).count() == 5
 
 
@@ -301,27 +460,34 @@ def test_append_stream(spark, tmp_path):
 
 
 def test_append_stream_replays_a_batch(spark, tmp_path):
-    """A batch whose commit is lost is run again: nothing is lost or repeated. A new checkpoint can't overwrite batches."""
+    """A batch whose commit is lost is run again: nothing is lost or repeated. A new checkpoint can't overwrite
+    batches."""
     from tidemark.streaming.append import append_changed_stream
 
     schema = "k string, recorded_at timestamp_ntz, v int"
     src, out, chk = f"{tmp_path}/in", f"{tmp_path}/out", tmp_path / "chk"
     for key, v, day in [("x", 1, 1), ("y", 5, 2)]:
         spark.createDataFrame([(key, T(2024, 1, day), v)], schema).coalesce(1).write.mode("append").parquet(src)
-        append_changed_stream(spark.readStream.schema(schema).parquet(src), out, str(chk), ["k"], ["v"]).awaitTermination()
+        append_changed_stream(
+            spark.readStream.schema(schema).parquet(src), out, str(chk), ["k"], ["v"]
+        ).awaitTermination()
     read = lambda path: sorted((r.k, r.v) for r in spark.read.schema(schema).parquet(path).collect())
     assert read(out) == [("x", 1), ("y", 5)]
     for batch in (1, 0):
         for name in (f"{batch}", f".{batch}.crc"):
             if (chk / "commits" / name).exists():
                 (chk / "commits" / name).unlink()
-        append_changed_stream(spark.readStream.schema(schema).parquet(src), out, str(chk), ["k"], ["v"]).awaitTermination()
+        append_changed_stream(
+            spark.readStream.schema(schema).parquet(src), out, str(chk), ["k"], ["v"]
+        ).awaitTermination()
         assert read(out) == [("x", 1), ("y", 5)]
     with pytest.raises(ValueError, match="another checkpoint"):
         append_changed_stream(spark.readStream.schema(schema).parquet(src), out, f"{tmp_path}/new", ["k"], ["v"])
     more = f"{tmp_path}/more"
     spark.createDataFrame([("x", T(2024, 1, 9), 1), ("y", T(2024, 1, 9), 6)], schema).write.parquet(more)
-    append_changed_stream(spark.readStream.schema(schema).parquet(more), f"{tmp_path}/out2", f"{tmp_path}/new", ["k"], ["v"], base=out).awaitTermination()
+    append_changed_stream(
+        spark.readStream.schema(schema).parquet(more), f"{tmp_path}/out2", f"{tmp_path}/new", ["k"], ["v"], base=out
+    ).awaitTermination()
     assert read(f"{tmp_path}/out2") == [("y", 6)]
 
 
@@ -329,10 +495,19 @@ def test_request_contexts():
     utc, taipei = dt.UTC, dt.timezone(dt.timedelta(hours=8))
     arrived = T(2024, 6, 1, tzinfo=utc)
     assert reads.context(arrived) == reads.Market(arrived, arrived)
-    assert reads.context(arrived, information_as_of="2024-05-01T08:00:00+08:00") == reads.Market(T(2024, 5, 1, tzinfo=utc), arrived)
-    assert reads.context(arrived, system_as_of=T(2024, 5, 1, 8, tzinfo=taipei)) == reads.System(T(2024, 5, 1, tzinfo=utc))
+    assert reads.context(arrived, information_as_of="2024-05-01T08:00:00+08:00") == reads.Market(
+        T(2024, 5, 1, tzinfo=utc), arrived
+    )
+    assert reads.context(
+        arrived, system_as_of=T(2024, 5, 1, 8, tzinfo=taipei)
+    ) == reads.System(T(2024, 5, 1, tzinfo=utc))
     assert reads.context(arrived, knowledge_as_of="latest") == reads.Market(arrived, arrived)
-    for bad, message in (({"information_as_of": "2024-05-01"}, "offset"), ({"system_as_of": T(2024, 5, 1)}, "offset"), ({"when": "now"}, "unknown"), ({"knowledge_as_of": "soon"}, "ISO")):
+    for bad, message in (
+        ({"information_as_of": "2024-05-01"}, "offset"),
+        ({"system_as_of": T(2024, 5, 1)}, "offset"),
+        ({"when": "now"}, "unknown"),
+        ({"knowledge_as_of": "soon"}, "ISO"),
+    ):
         with pytest.raises(ValueError, match=message):
             reads.context(arrived, **bad)
     with pytest.raises(ValueError, match="combined"):
@@ -341,10 +516,16 @@ def test_request_contexts():
 
 def test_reads_by_name(spark, tmp_path):
     schema = dataset("industry_changes").schema
-    rows = [("1", "n", D(2024, 3, 1), T(2024, 2, 1), D(2024, 1, 31), "d", "01", "02", None, "f"), ("2", "n", D(2024, 4, 1), T(2024, 2, 2), D(2024, 2, 1), "d", "01", "03", None, "f")]
+    rows = [
+        ("1", "n", D(2024, 3, 1), T(2024, 2, 1), D(2024, 1, 31), "d", "01", "02", None, "f"),
+        ("2", "n", D(2024, 4, 1), T(2024, 2, 2), D(2024, 2, 1), "d", "01", "03", None, "f"),
+    ]
     spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/industry_changes")
     arrived = T(2024, 6, 1, tzinfo=dt.UTC)
-    see = lambda at, **k: [r.stock_id for r in reads.visible_rows(spark, str(tmp_path), "industry_changes", at, **k).orderBy("stock_id").collect()]
+    see = lambda at, **k: [
+        r.stock_id
+        for r in reads.visible_rows(spark, str(tmp_path), "industry_changes", at, **k).orderBy("stock_id").collect()
+    ]
     assert see(reads.context(arrived)) == ["1", "2"] and see(reads.context(arrived), stock_ids=["2"]) == ["2"]
     assert see(reads.context(arrived, information_as_of="2024-02-01T00:00:00+08:00")) == ["1"]
     assert see(reads.context(arrived, system_as_of="2024-02-01T12:00:00Z")) == ["1"]
@@ -357,7 +538,9 @@ def test_reads_by_name(spark, tmp_path):
         reads.visible_rows(spark, str(tmp_path), "nothing", reads.context(arrived))
     technical = derived.derived_datasets({}, {})["technical_indicators"]
     with pytest.raises(ValueError, match="earlier cutoff"):
-        reads.derived_rows(spark.range(1), technical, {}, reads.context(arrived, knowledge_as_of="2024-05-01T00:00:00Z"), arrived)
+        reads.derived_rows(
+            spark.range(1), technical, {}, reads.context(arrived, knowledge_as_of="2024-05-01T00:00:00Z"), arrived
+        )
 
 
 def test_rolling_panel_equals_recomputing_every_segment(spark):
@@ -368,11 +551,24 @@ def test_rolling_panel_equals_recomputing_every_segment(spark):
         at = T(day.year, day.month, day.day, 18)
         for extra in [0, *[r.randint(1, 900) for _ in range(r.choice([0, 0, 0, 1, 2]))]]:
             close = None if r.random() < 0.1 else round(50 + r.gauss(0, 5), 2)
-            rows.append(("1", "a", day, at + dt.timedelta(hours=extra), close, None if close is None or r.random() < 0.05 else close + 1, None if close is None else close - 1, r.randint(1, 9)))
+            rows.append(
+                (
+                    "1",
+                    "a",
+                    day,
+                    at + dt.timedelta(hours=extra),
+                    close,
+                    None if close is None or r.random() < 0.05 else close + 1,
+                    None if close is None else close - 1,
+                    r.randint(1, 9),
+                )
+            )
     schema = "stock_id string, source string, trade_date date, recorded_at timestamp_ntz, close double, high double, low double, volume bigint"
     rows = list({(x[2], x[3]): x for x in rows}.values())
     a = pit.with_available_at(spark.createDataFrame(rows, schema), KEY, "trade_date", instants.exchange_daily_settled)
-    want = pit.rolling_as_of(a, SERIES, "trade_date", instants.exchange_daily_settled, lambda df, by: metrics.technical_panel(df, by)).orderBy("trade_date").collect()
+    want = pit.rolling_as_of(
+        a, SERIES, "trade_date", instants.exchange_daily_settled, lambda df, by: metrics.technical_panel(df, by)
+    ).orderBy("trade_date").collect()
     got = rolling.rolling_panel(a, instants.exchange_daily_settled).orderBy("trade_date").collect()
     assert len(got) == len(want) == 60
     for g, w in zip(got, want):
@@ -383,12 +579,20 @@ def test_rolling_panel_equals_recomputing_every_segment(spark):
 
 def test_audit_finds_a_read_that_looks_ahead(spark):
     r = random.Random(4)
-    rows = [(d, T(2024, 1, d, 20) + dt.timedelta(hours=h), d) for d in range(1, 15) for h in {0, *(r.randint(1, 200) for _ in range(2))}]
+    rows = [
+        (d, T(2024, 1, d, 20) + dt.timedelta(hours=h), d)
+        for d in range(1, 15)
+        for h in {0, *(r.randint(1, 200) for _ in range(2))}
+    ]
     a = pit.with_available_at(versions(spark, rows), KEY, "trade_date", instants.exchange_daily_settled)
     at = [T(2024, 1, d, h) for d in range(1, 28) for h in (0, 13)]
     probes = spark.createDataFrame([(x,) for x in at], "probe timestamp_ntz")
     held = a.collect()
-    for rule, instant in ((None, lambda x: max(x.available_at, x.recorded_at)), (F.col("recorded_at"), lambda x: x.recorded_at), (F.col("available_at"), lambda x: x.available_at)):
+    for rule, instant in (
+        (None, lambda x: max(x.available_at, x.recorded_at)),
+        (F.col("recorded_at"), lambda x: x.recorded_at),
+        (F.col("available_at"), lambda x: x.available_at),
+    ):
         got = {x.probe: (x.leaked, x.visible) for x in pit.look_ahead_audit(a, KEY, probes, rule).collect()}
         for p in at:
             seen = {}
@@ -397,19 +601,32 @@ def test_audit_finds_a_read_that_looks_ahead(spark):
                     seen[x.trade_date] = x
             assert got[p] == (sum(x.available_at > p for x in seen.values()), len(seen))
     with pytest.raises(ValueError, match="probes"):
-        pit.look_ahead_audit(a, KEY, spark.range(1001).select(F.timestamp_seconds("id").cast("timestamp_ntz").alias("probe")))
+        pit.look_ahead_audit(
+            a, KEY, spark.range(1001).select(F.timestamp_seconds("id").cast("timestamp_ntz").alias("probe"))
+        )
 
 
 def test_incremental_runs_touch_changed_series_only(spark):
     day = lambda n: D(2020, 1, 1) + dt.timedelta(days=n)
     rows = [(s, "feed", day(n), T(2020, 1, 1) + dt.timedelta(days=n), 1.0, 1) for s in ("1", "2") for n in range(900)]
-    flows = spark.createDataFrame(rows, "stock_id string, source string, trade_date date, recorded_at timestamp_ntz, net double, volume bigint")
+    flows = spark.createDataFrame(
+        rows, "stock_id string, source string, trade_date date, recorded_at timestamp_ntz, net double, volume bigint"
+    )
     prices = flows.select("stock_id", F.lit("board").alias("source"), "trade_date", "recorded_at", "volume")
     new = spark.createDataFrame([("1", "feed", day(900), T(2023, 1, 1), 1.0, 1)], flows.schema)
     found = derived.derived_datasets({"feed": "board"}, {"feed": "holders"})
-    inputs = {"institutional_flows": flows.unionByName(new), "daily_prices": prices.unionByName(new.select("stock_id", F.lit("board").alias("source"), "trade_date", "recorded_at", "volume"))}
-    held = flows.limit(0).select("stock_id", "source", "trade_date", "recorded_at", F.col("volume").alias("issued_shares"))
-    for name, column in (("institutional_streaks", "net_streak_days"), ("institutional_cumulative_flow", "net_cumulative_net")):
+    inputs = {
+        "institutional_flows": flows.unionByName(new),
+        "daily_prices": prices.unionByName(
+            new.select("stock_id", F.lit("board").alias("source"), "trade_date", "recorded_at", "volume")
+        ),
+    }
+    held = flows.limit(0).select(
+        "stock_id", "source", "trade_date", "recorded_at", F.col("volume").alias("issued_shares")
+    )
+    for name, column in (
+        ("institutional_streaks", "net_streak_days"), ("institutional_cumulative_flow", "net_cumulative_net")
+    ):
         given = {k: v for k, v in {**inputs, "foreign_holdings": held}.items() if k in found[name].inputs}
         before = {k: v.where("recorded_at < timestamp_ntz'2022-12-01 00:00:00'") for k, v in given.items()}
         stored = derived.run(found[name], before, None, None, ts("2022-12-01 00:00:00"))

@@ -1,4 +1,5 @@
-"""Every registered query of the library against its SQL on the smallest tables (the text subpackage has its own tests)."""
+"""Every registered query of the library against its SQL on the smallest tables (the text subpackage has its own
+tests)."""
 
 import datetime
 import decimal
@@ -37,7 +38,15 @@ def plain(value):
 def rows(columns, data):
     order = sorted(range(len(columns)), key=lambda i: columns[i])
     shown = [tuple(plain(r[i]) for i in order) for r in data]
-    return sorted(shown, key=lambda r: [(x is None, round(x, 3) if isinstance(x, float) else x, "") if not isinstance(x, (str, bool)) else (x is None, 0, str(x)) for x in r])
+    return sorted(
+        shown,
+        key=lambda r: [
+            (x is None, round(x, 3) if isinstance(x, float) else x, "")
+            if not isinstance(x, (str, bool))
+            else (x is None, 0, str(x))
+            for x in r
+        ],
+    )
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
@@ -53,7 +62,11 @@ def test_query(spark, duck, name):
     assert len(got) == len(want)
     for a, b in zip(got, want):
         for x, y in zip(a, b):
-            assert x == y or (isinstance(x, (int, float)) and isinstance(y, (int, float)) and math.isclose(x, y, rel_tol=1e-6, abs_tol=1e-6)), (a, b)
+            assert x == y or (
+                isinstance(x, (int, float))
+                and isinstance(y, (int, float))
+                and math.isclose(x, y, rel_tol=1e-6, abs_tol=1e-6)
+            ), (a, b)
 
 
 def test_entry():

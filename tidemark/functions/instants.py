@@ -52,7 +52,10 @@ def quarter_end(year: Column, quarter: Column) -> Column:
 
 def previous_quarter(year: Column, quarter: Column) -> Column:
     """(year, quarter) before."""
-    return F.struct(F.when(quarter == 1, year - 1).otherwise(year).alias("year"), F.when(quarter == 1, F.lit(4)).otherwise(quarter - 1).alias("quarter"))
+    return F.struct(
+        F.when(quarter == 1, year - 1).otherwise(year).alias("year"),
+        F.when(quarter == 1, F.lit(4)).otherwise(quarter - 1).alias("quarter"),
+    )
 
 
 def monthly_page_settled(month: Column) -> Column:
@@ -62,8 +65,12 @@ def monthly_page_settled(month: Column) -> Column:
 
 def report_deadline(year: Column, quarter: Column) -> Column:
     """The day after the filing deadline: 15 May, 15 August, 15 November, 31 March of the next year."""
-    day = F.when(quarter == 1, F.make_date(year.cast("int"), F.lit(5), F.lit(15))).when(quarter == 2, F.make_date(year.cast("int"), F.lit(8), F.lit(15)))
-    day = day.when(quarter == 3, F.make_date(year.cast("int"), F.lit(11), F.lit(15))).otherwise(F.make_date(year.cast("int") + 1, F.lit(3), F.lit(31)))
+    day = F.when(quarter == 1, F.make_date(year.cast("int"), F.lit(5), F.lit(15))).when(
+        quarter == 2, F.make_date(year.cast("int"), F.lit(8), F.lit(15))
+    )
+    day = day.when(quarter == 3, F.make_date(year.cast("int"), F.lit(11), F.lit(15))).otherwise(
+        F.make_date(year.cast("int") + 1, F.lit(3), F.lit(31))
+    )
     return local_instant(F.date_add(day, 1), 0)
 
 

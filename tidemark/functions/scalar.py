@@ -31,7 +31,12 @@ def roc_date(text: Column) -> Column:
     even = F.regexp_replace(packed, r"^(\d{2,3})[./-](\d{1,2})[./-](\d{1,2})$", "$1-$2-$3")
     year = F.regexp_extract(even, r"^(\d{2,3})-\d{1,2}-\d{1,2}$", 1)
     rest = F.regexp_extract(even, r"^\d{2,3}(-\d{1,2}-\d{1,2})$", 1)
-    return F.when(year != "", F.try_to_timestamp(F.concat((year.try_cast("int") + ROC_OFFSET).cast("string"), rest), F.lit("yyyy-M-d")).cast("date"))
+    return F.when(
+        year != "",
+        F.try_to_timestamp(
+            F.concat((year.try_cast("int") + ROC_OFFSET).cast("string"), rest), F.lit("yyyy-M-d")
+        ).cast("date"),
+    )
 
 
 def number(text: Column, scale: int = 6, missing: Iterable[str] = MISSING) -> Column:
@@ -44,10 +49,13 @@ def number(text: Column, scale: int = 6, missing: Iterable[str] = MISSING) -> Co
 def signed_change(sign: Column, magnitude: Column) -> Column:
     """(change, direction, bad) of a sign marker and a magnitude.
 
-    ``X``: no comparison, the change is null. A blank sign needs a zero magnitude: ``flat``. ``+`` and ``-`` as they say.
+    ``X``: no comparison, the change is null. A blank sign needs a zero magnitude: ``flat``. ``+`` and ``-`` as they
+    say.
     """
     mark = F.upper(F.trim(F.coalesce(sign, F.lit(""))))
-    change = F.when(mark == "-", -magnitude).when(mark == "+", magnitude).when((mark == "") & (magnitude == 0), magnitude)
+    change = F.when(mark == "-", -magnitude).when(mark == "+", magnitude).when(
+        (mark == "") & (magnitude == 0), magnitude
+    )
     direction = F.when(mark.isin("X", "+", "-"), mark).when((mark == "") & (magnitude == 0), "flat")
     return F.struct(change.alias("change"), direction.alias("direction"), direction.isNull().alias("bad"))
 
@@ -65,7 +73,9 @@ def to_base_unit(value: Column, unit: Column) -> Column:
     return F.when(unit.isin("lot", "thousand"), value * 1000).when(unit.isin("share", "unit"), value)
 
 
-def apply_lot_sizes(df: DataFrame, exceptions: DataFrame, code: str, date: str, lots: str, default: int = 1000) -> DataFrame:
+def apply_lot_sizes(
+    df: DataFrame, exceptions: DataFrame, code: str, date: str, lots: str, default: int = 1000
+) -> DataFrame:
     """Lots to shares with dated lot sizes (code, valid_from, valid_to, lot_size).
 
     A code of the exception table uses its own size inside its dates; outside them the row is flagged
@@ -98,7 +108,9 @@ def label_code(label: Column, codes: Mapping[str, str]) -> Column:
 
 def report_period(text: Column) -> Column:
     """``115/2`` or ``115Q2`` as ``2026Q2``; null if it is none."""
-    year, quarter = F.regexp_extract(text, r"^\s*(\d{2,3})\s*[/Q]\s*([1-4])\s*$", 1), F.regexp_extract(text, r"^\s*(\d{2,3})\s*[/Q]\s*([1-4])\s*$", 2)
+    year, quarter = F.regexp_extract(text, r"^\s*(\d{2,3})\s*[/Q]\s*([1-4])\s*$", 1), F.regexp_extract(
+        text, r"^\s*(\d{2,3})\s*[/Q]\s*([1-4])\s*$", 2
+    )
     return F.when(year != "", F.concat((year.try_cast("int") + ROC_OFFSET).cast("string"), F.lit("Q"), quarter))
 
 
@@ -151,8 +163,12 @@ def accounting_amount(text: Column, sign: Column, power: Column) -> Column:
     amount = cleaned.try_cast("decimal(38,12)")
     signed, minus = F.coalesce(sign != "", F.lit(False)), F.coalesce(sign == "-", F.lit(False))
     infinite = cleaned.rlike(r"(?i)^[+-]?(s?nan\d*|inf|infinity)$")
-    bad = (closed & signed) | infinite | F.when(amount.isNull(), F.length(cleaned) > PLACEHOLDER_LENGTH).otherwise(signed & ~minus)
-    scaled = F.concat(amount.cast("string"), F.lit("E"), F.coalesce(power, F.lit(0)).cast("string")).try_cast("decimal(38,12)")
+    bad = (closed & signed) | infinite | F.when(
+        amount.isNull(), F.length(cleaned) > PLACEHOLDER_LENGTH
+    ).otherwise(signed & ~minus)
+    scaled = F.concat(
+        amount.cast("string"), F.lit("E"), F.coalesce(power, F.lit(0)).cast("string")
+    ).try_cast("decimal(38,12)")
     value = F.when(~bad, F.when(minus, -scaled).otherwise(scaled))
     return F.struct(value.cast("decimal(38,12)").alias("value"), bad.alias("bad"))
 
@@ -169,28 +185,43 @@ def with_category(df: DataFrame, dimension: DataFrame, label: str, date: str, su
     ``dimension`` has (name, code, valid_from, valid_to), a row per name with open ends null.
     """
     bare = F.regexp_replace(F.trim(F.col(label)), f"\\Q{suffix}\\E$", "")
-    d = dimension.select(F.col("name").alias("__name"), F.col("code").alias("category_code"), F.col("valid_from").alias("__from"), F.col("valid_to").alias("__to"))
-    during = (F.col("__from").isNull() | (df[date] >= F.col("__from"))) & (F.col("__to").isNull() | (df[date] < F.col("__to")))
+    d = dimension.select(
+        F.col("name").alias("__name"),
+        F.col("code").alias("category_code"),
+        F.col("valid_from").alias("__from"),
+        F.col("valid_to").alias("__to"),
+    )
+    during = (F.col("__from").isNull() | (df[date] >= F.col("__from"))) & (
+        F.col("__to").isNull() | (df[date] < F.col("__to"))
+    )
     return df.join(d, (bare == F.col("__name")) & during, "left").select(*df.columns, "category_code")
 
 
 def category_exists(df: DataFrame, dimension: DataFrame, code: str, date: str) -> DataFrame:
     """Add ``category_exists``: whether the code is in effect on the date."""
-    d = dimension.select(F.col("code").alias("__code"), F.col("valid_from").alias("__from"), F.col("valid_to").alias("__to")).distinct()
-    during = (F.col("__from").isNull() | (df[date] >= F.col("__from"))) & (F.col("__to").isNull() | (df[date] < F.col("__to")))
+    d = dimension.select(
+        F.col("code").alias("__code"), F.col("valid_from").alias("__from"), F.col("valid_to").alias("__to")
+    ).distinct()
+    during = (F.col("__from").isNull() | (df[date] >= F.col("__from"))) & (
+        F.col("__to").isNull() | (df[date] < F.col("__to"))
+    )
     hits = df.join(d, (df[code] == F.col("__code")) & during, "left")
     return hits.groupBy(*df.columns).agg((F.count("__code") > 0).alias("category_exists"))
 
 
 def movement(change: Column, direction: Column) -> Column:
     """unmatched, flat, up or down."""
-    return F.when(direction == "X", "unmatched").when(change.isNull() | (change == 0), "flat").when(change > 0, "up").otherwise("down")
+    return F.when(direction == "X", "unmatched").when(
+        change.isNull() | (change == 0), "flat"
+    ).when(change > 0, "up").otherwise("down")
 
 
 def exchange_of(source: Column, exchanges: Mapping[str, str]) -> Column:
     """The exchange of a source; an unknown source fails the job."""
     found = label_code(source, exchanges)
-    return F.when(found.isNotNull(), found).otherwise(F.raise_error(F.concat(F.lit("unknown source "), F.coalesce(source, F.lit("null")))).cast("string"))
+    return F.when(found.isNotNull(), found).otherwise(
+        F.raise_error(F.concat(F.lit("unknown source "), F.coalesce(source, F.lit("null")))).cast("string")
+    )
 
 
 def index_identity(section: Column, title: Column, name: Column) -> Column:

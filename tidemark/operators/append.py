@@ -23,7 +23,9 @@ def with_latest(incoming: DataFrame, stored: DataFrame, keys: Sequence[str], val
     old = old.select(*[F.col(k).alias(f"__{k}") for k in keys], F.struct(*values).alias("__old"))
     same = [incoming[k].eqNullSafe(F.col(f"__{k}")) for k in keys]
     joined = incoming.join(old, same, "left").drop(*[f"__{k}" for k in keys])
-    return joined.withColumn("is_new", F.col("__old").isNull()).withColumn("is_changed", F.col("__old").isNull() | _differs(values))
+    return joined.withColumn("is_new", F.col("__old").isNull()).withColumn(
+        "is_changed", F.col("__old").isNull() | _differs(values)
+    )
 
 
 def append_changed(incoming: DataFrame, stored: DataFrame, keys: Sequence[str], values: Sequence[str]) -> DataFrame:
@@ -40,11 +42,15 @@ def stamp_published(changed: DataFrame, purpose: str, published: str = "publishe
 def in_universe(rows: DataFrame, spans: DataFrame, date: str) -> tuple[DataFrame, DataFrame]:
     """(rows of stocks listed on their date, count of the others)."""
     s = spans.select(F.col("stock_id").alias("__s"), "listed_on", "delisted_on")
-    inside = (rows.stock_id == F.col("__s")) & (F.col("listed_on").isNull() | (rows[date] >= F.col("listed_on"))) & (F.col("delisted_on").isNull() | (rows[date] < F.col("delisted_on")))
+    inside = (rows.stock_id == F.col("__s")) & (F.col("listed_on").isNull() | (rows[date] >= F.col("listed_on"))) & (
+        F.col("delisted_on").isNull() | (rows[date] < F.col("delisted_on"))
+    )
     return rows.join(s, inside, "left_semi"), rows.join(s, inside, "left_anti").agg(F.count("*").alias("out_of_scope"))
 
 
-def ingest_counters(incoming: DataFrame, stored: DataFrame, keys: Sequence[str], values: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
+def ingest_counters(
+    incoming: DataFrame, stored: DataFrame, keys: Sequence[str], values: Sequence[str], by: Sequence[str] = ()
+) -> DataFrame:
     """parsed, appended, new_keys and unchanged rows, per ``by`` if given (D5). Flag columns out_of_scope,
     unverified and rejected are counted where present and such rows are not appended."""
     flags = [c for c in ("out_of_scope", "unverified", "rejected") if c in incoming.columns]
@@ -52,11 +58,21 @@ def ingest_counters(incoming: DataFrame, stored: DataFrame, keys: Sequence[str],
     for f in flags:
         dropped = dropped | F.col(f)
     judged = with_latest(incoming, stored, keys, values)
-    counts = [F.count("*").alias("parsed"), F.count_if(F.col("is_changed") & ~dropped).alias("appended"), F.count_if(F.col("is_new") & ~dropped).alias("new_keys")]
-    return judged.groupBy(*by).agg(*counts, F.count_if(~F.col("is_changed") & ~dropped).alias("unchanged"), *[F.count_if(F.col(f)).alias(f) for f in flags])
-
-
-def retractions(listed: DataFrame, stored: DataFrame, keys: Sequence[str], start: Column, end: Column, date: str) -> DataFrame:
+    counts = [
+        F.count("*").alias("parsed"),
+        F.count_if(F.col("is_changed") & ~dropped).alias("appended"),
+        F.count_if(F.col("is_new") & ~dropped).alias("new_keys"),
+    ]
+    return judged.groupBy(*by).agg(
+        *counts,
+        F.count_if(~F.col("is_changed") & ~dropped).alias("unchanged"),
+        *[F.count_if(F.col(f)).alias(f) for f in flags],
+    )
+
+
+def retractions(
+    listed: DataFrame, stored: DataFrame, keys: Sequence[str], start: Column, end: Column, date: str
+) -> DataFrame:
     """Tombstones (D6): stored, not retracted events in the executed range that are no longer listed."""
     live = latest_per_key(stored, keys).where(~F.col("retracted") & F.col(date).between(start, end))
     return live.join(listed.select(*keys).distinct(), list(keys), "left_anti").withColumn("retracted", F.lit(True))
@@ -72,7 +88,9 @@ def executed_counts(rows: DataFrame, date: str, through: Column) -> DataFrame:
     return rows.agg(F.count_if(F.col(date) <= through).alias("kept"), F.count_if(F.col(date) > through).alias("future"))
 
 
-def needs_detail(listed: DataFrame, stored: DataFrame, keys: Sequence[str], published: Sequence[str], correction_check: bool = False) -> DataFrame:
+def needs_detail(
+    listed: DataFrame, stored: DataFrame, keys: Sequence[str], published: Sequence[str], correction_check: bool = False
+) -> DataFrame:
     """Listed rows whose detail must be fetched (D8): new, or differing from the stored row on its published columns."""
     judged = with_latest(listed, stored, keys, published)
     return (judged if correction_check else judged.where("is_changed")).drop("__old", "is_new", "is_changed")
@@ -80,9 +98,15 @@ def needs_detail(listed: DataFrame, stored: DataFrame, keys: Sequence[str], publ
 
 def complete_with_detail(listed: DataFrame, detail: DataFrame, locator: str, identity: str) -> DataFrame:
     """List rows joined with their detail; ``violation`` where it is missing or names another identity."""
-    d = detail.select(F.col(locator), F.col(identity).alias("__identity"), *[c for c in detail.columns if c not in (locator, identity)])
+    d = detail.select(
+        F.col(locator),
+        F.col(identity).alias("__identity"),
+        *[c for c in detail.columns if c not in (locator, identity)],
+    )
     joined = listed.join(d, locator, "left")
-    violation = F.when(F.col("__identity").isNull(), "detail_missing").when(F.col("__identity") != F.col(identity), "identity_mismatch")
+    violation = F.when(F.col("__identity").isNull(), "detail_missing").when(
+        F.col("__identity") != F.col(identity), "identity_mismatch"
+    )
     return joined.withColumn("violation", violation).drop("__identity")
 
 
@@ -96,11 +120,15 @@ def fact_fingerprints(facts: DataFrame, report: Sequence[str], columns: Sequence
         return F.coalesce(value, F.lit("\\N"))
 
     line = F.concat_ws("|", *[text(c) for c in columns])
-    return facts.groupBy(*report).agg(F.sha2(F.array_join(F.array_sort(F.collect_list(line)), "\n"), 256).alias("fingerprint"), F.count("*").alias("facts"))
+    return facts.groupBy(*report).agg(
+        F.sha2(F.array_join(F.array_sort(F.collect_list(line)), "\n"), 256).alias("fingerprint"),
+        F.count("*").alias("facts"),
+    )
 
 
 def new_report_versions(incoming: DataFrame, stored: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Incoming reports (keys, category, fingerprint) whose category or fact set differs from the latest version."""
+    """Incoming reports (keys, category, fingerprint) whose category or fact set differs from the latest version
+    (D10)."""
     return append_changed(incoming, stored, keys, ["report_category", "fingerprint"])
 
 
@@ -112,10 +140,14 @@ def category_fallback(reports: DataFrame, keys: Sequence[str], preference: Seque
 
 def latest_fetch(fetches: DataFrame) -> DataFrame:
     """The last fetch of every resource, by time and then attempt."""
-    return latest_per_key(fetches.withColumn("__by", F.struct("fetched_at", "attempt")), ["dataset", "source", "resource_key"], "__by").drop("__by")
+    return latest_per_key(
+        fetches.withColumn("__by", F.struct("fetched_at", "attempt")), ["dataset", "source", "resource_key"], "__by"
+    ).drop("__by")
 
 
-def pending(expected: DataFrame, fetches: DataFrame, held_back: Sequence[str] = (), final: Sequence[str] = ()) -> DataFrame:
+def pending(
+    expected: DataFrame, fetches: DataFrame, held_back: Sequence[str] = (), final: Sequence[str] = ()
+) -> DataFrame:
     """Expected resources (dataset, source, resource_key, settled_at) that are not done.
 
     Done: the latest fetch succeeded, bears no held-back reason and is not before the settled instant; or it was
@@ -125,12 +157,20 @@ def pending(expected: DataFrame, fetches: DataFrame, held_back: Sequence[str] =
     key = ["dataset", "source", "resource_key"]
     joined = expected.join(latest, key, "left")
     reason = F.coalesce(F.col("reason_code"), F.lit(""))
-    done = (F.col("status") == "succeeded") & ~reason.isin(list(held_back)) & (F.col("fetched_at") >= F.col("settled_at"))
+    done = (F.col("status") == "succeeded") & ~reason.isin(list(held_back)) & (
+        F.col("fetched_at") >= F.col("settled_at")
+    )
     done = done | ((F.col("status") == "quarantined") & reason.isin(list(final)))
     return joined.where(~F.coalesce(done, F.lit(False))).select(*expected.columns)
 
 
-def pending_any(expected: DataFrame, fetches: DataFrame, ids: Sequence[str], held_back: Sequence[str] = (), final: Sequence[str] = ()) -> DataFrame:
+def pending_any(
+    expected: DataFrame,
+    fetches: DataFrame,
+    ids: Sequence[str],
+    held_back: Sequence[str] = (),
+    final: Sequence[str] = (),
+) -> DataFrame:
     """Expected items that no one of their alternative resource ids (columns ``ids``) has done."""
     done = None
     for column in ids:
@@ -148,14 +188,18 @@ def expected_days(calendar: DataFrame, start: Column, end: Column) -> DataFrame:
 
 def expected_months(calendar: DataFrame, start: Column, end: Column) -> DataFrame:
     """Months with a trading day in a range."""
-    return calendar.where(F.col("trade_date").between(start, end)).select(F.trunc("trade_date", "month").alias("period")).distinct()
+    return calendar.where(F.col("trade_date").between(start, end)).select(
+        F.trunc("trade_date", "month").alias("period")
+    ).distinct()
 
 
 def expected_quarters(spark, start: str, end: str) -> DataFrame:
     """(report_year, report_quarter) of quarters that end in a range."""
     day = spark.sql(f"select explode(sequence(trunc(date'{start}', 'quarter'), date'{end}', interval 3 months)) as q")
     last = F.last_day(F.add_months("q", 2))
-    return day.where(last.between(F.lit(start).cast("date"), F.lit(end).cast("date"))).select(F.year("q").alias("report_year"), F.quarter("q").alias("report_quarter"))
+    return day.where(last.between(F.lit(start).cast("date"), F.lit(end).cast("date"))).select(
+        F.year("q").alias("report_year"), F.quarter("q").alias("report_quarter")
+    )
 
 
 #: Periods of a grid: they stand in the plan.
@@ -170,10 +214,18 @@ def expected_grid(stocks: DataFrame, periods: DataFrame) -> DataFrame:
     held = periods.agg(F.array_sort(F.collect_list(F.struct(*periods.columns))).alias("__p")).first()
     if not held or not held["__p"]:
         return stocks.limit(0)
-    literal = F.array(*[F.struct(*[F.lit(p[c]).cast(periods.schema[c].dataType).alias(c) for c in periods.columns]) for p in held["__p"]])
-    return stocks.select("*", F.explode(literal).alias("__q")).select(*stocks.columns, *[F.col(f"__q.{c}").alias(c) for c in periods.columns])
-
-
+    literal = F.array(
+        *[
+            F.struct(*[F.lit(p[c]).cast(periods.schema[c].dataType).alias(c) for c in periods.columns])
+            for p in held["__p"]
+        ]
+    )
+    return stocks.select("*", F.explode(literal).alias("__q")).select(
+        *stocks.columns, *[F.col(f"__q.{c}").alias(c) for c in periods.columns]
+    )
+
+
+#: What a fetch may end as.
 STATUSES = ("succeeded", "empty", "failed", "quarantined")
 
 
@@ -187,11 +239,14 @@ def sweeps_done(expected: DataFrame, fetches: DataFrame, sweep: Sequence[str]) -
     """Sweeps every expected page of which was last fetched with success."""
     latest = latest_fetch(fetches).select("dataset", "source", "resource_key", "status")
     joined = expected.join(latest, ["dataset", "source", "resource_key"], "left")
-    return joined.groupBy(*sweep).agg(F.every(F.coalesce(F.col("status") == "succeeded", F.lit(False))).alias("done"), F.count("*").alias("pages"))
+    return joined.groupBy(*sweep).agg(
+        F.every(F.coalesce(F.col("status") == "succeeded", F.lit(False))).alias("done"), F.count("*").alias("pages")
+    )
 
 
 def reconciliation_dates(calendar: DataFrame, effective: DataFrame) -> DataFrame:
-    """First and last calendar day, and for each effective date the trading day before it and the first at or after it.
+    """First and last calendar day, and for each effective date the trading day before it and the first at or after it
+    (D19).
 
     Days and effective dates are merged in one ordered window; calendars are small.
     """
@@ -203,13 +258,17 @@ def reconciliation_dates(calendar: DataFrame, effective: DataFrame) -> DataFrame
     after = F.min(F.when(F.col("is_day") == 1, F.col("d"))).over(w.rowsBetween(1, Window.unboundedFollowing))
     around = both.select("is_day", before.alias("b"), after.alias("a")).where("is_day = 0")
     ends = calendar.agg(F.min("trade_date").alias("b"), F.max("trade_date").alias("a"))
-    return around.select("b", "a").unionByName(ends).select(F.explode(F.array("b", "a")).alias("trade_date")).where("trade_date is not null").distinct()
+    return around.select("b", "a").unionByName(ends).select(F.explode(F.array("b", "a")).alias("trade_date")).where(
+        "trade_date is not null"
+    ).distinct()
 
 
 def provenance(rows: DataFrame, fetches: DataFrame, columns: Sequence[str]) -> DataFrame:
     """(fetch_id, sha256 in hex) of every fetch named in any of the columns."""
     ids = rows.select(F.explode(F.array(*columns)).alias("id")).where("id is not null").distinct()
-    return ids.join(fetches.select("id", F.lower(F.hex("sha256")).alias("sha256")), "id").withColumnRenamed("id", "fetch_id")
+    return ids.join(
+        fetches.select("id", F.lower(F.hex("sha256")).alias("sha256")), "id"
+    ).withColumnRenamed("id", "fetch_id")
 
 
 def latest_payload_listing(payloads: DataFrame, spans: DataFrame) -> DataFrame:
@@ -219,5 +278,7 @@ def latest_payload_listing(payloads: DataFrame, spans: DataFrame) -> DataFrame:
     """
     latest = latest_per_key(payloads, ["source", "trade_date"], "fetched_at")
     listed = latest.select("source", "trade_date", F.explode("stock_ids").alias("__stock"))
-    inside = (spans.stock_id == F.col("__stock")) & (F.col("trade_date") >= F.col("listed_on")) & (F.col("delisted_on").isNull() | (F.col("trade_date") < F.col("delisted_on")))
+    inside = (spans.stock_id == F.col("__stock")) & (F.col("trade_date") >= F.col("listed_on")) & (
+        F.col("delisted_on").isNull() | (F.col("trade_date") < F.col("delisted_on"))
+    )
     return spans.join(listed, inside, "left").groupBy(*spans.columns).agg(F.max("trade_date").alias("last_listed"))

@@ -43,8 +43,8 @@ class Input:
 class Derived:
     """``compute`` gets the latest rows of every input, by name, with the sources of the series.
 
-    The first input is the axis. ``restart``: columns of run lengths; a series whose first new row has one that spans all
-    rows read is computed from its start. ``more_changes`` (inputs, since) gives further (series, start)."""
+    The first input is the axis. ``restart``: columns of run lengths; a series whose first new row has one that spans
+    all rows read is computed from its start. ``more_changes`` (inputs, since) gives further (series, start)."""
 
     name: str
     inputs: Mapping[str, Input]
@@ -62,7 +62,9 @@ class Derived:
 def _streaks(parties: tuple[str, ...]) -> Callable[[Mapping[str, DataFrame]], DataFrame]:
     def compute(inputs: Mapping[str, DataFrame]) -> DataFrame:
         traded = inputs["daily_prices"].where("volume > 0").select(*SERIES, "trade_date")
-        rows = traded.join(inputs["institutional_flows"].select(*SERIES, "trade_date", *parties), [*SERIES, "trade_date"], "left")
+        rows = traded.join(
+            inputs["institutional_flows"].select(*SERIES, "trade_date", *parties), [*SERIES, "trade_date"], "left"
+        )
         return metrics.streaks(rows, parties).select(*SERIES, "trade_date", *[f"{p}_streak_days" for p in parties])
 
     return compute
@@ -75,14 +77,18 @@ def _cumulative(parties: tuple[str, ...]) -> Callable[[Mapping[str, DataFrame]],
         rows = rows.join(held, [*SERIES, "trade_date"], "left")
         for p in parties:
             rows = metrics.cumulative_flow(rows, p, out=f"{p}_cumulative_net")
-            rows = rows.withColumn(f"{p}_cumulative_ratio", metrics.flow_ratio(F.col(f"{p}_cumulative_net"), F.col("issued_shares")))
+            rows = rows.withColumn(
+                f"{p}_cumulative_ratio", metrics.flow_ratio(F.col(f"{p}_cumulative_net"), F.col("issued_shares"))
+            )
         return rows.select(*SERIES, "trade_date", *[f"{p}_cumulative_{x}" for p in parties for x in ("net", "ratio")])
 
     return compute
 
 
 def _valuations(inputs: Mapping[str, DataFrame]) -> DataFrame:
-    quarters = valuation.quarter_values(valuation.report_inputs(inputs["financial_reports"], inputs["financial_report_facts"]))
+    quarters = valuation.quarter_values(
+        valuation.report_inputs(inputs["financial_reports"], inputs["financial_report_facts"])
+    )
     days = inputs["daily_prices"].where("volume > 0").select(*SERIES, "trade_date", "close")
     return valuation.valuation_metrics(days, quarters)
 
@@ -94,7 +100,8 @@ def _report_changes(inputs: Mapping[str, DataFrame], since: Column) -> DataFrame
 def derived_datasets(
     price_source: Mapping[str, str], holding_source: Mapping[str, str], parties: tuple[str, ...] = ("net",)
 ) -> dict[str, Derived]:
-    """The seven derived datasets. ``price_source`` and ``holding_source`` name a flow source's price and holding source."""
+    """The seven derived datasets. ``price_source`` and ``holding_source`` name a flow source's price and holding
+    source."""
     flow_of_price = {price: flow for flow, price in price_source.items()}
     flow_of_holding = {holding: flow for flow, holding in holding_source.items()}
     prices, snapshots = Input(), Input(date="snapshot_date")
@@ -119,7 +126,12 @@ def derived_datasets(
             WHOLE,
             date="snapshot_date",
         ),
-        Derived("margin_metrics", {"margin_trading": Input(scope="day")}, lambda x: metrics.margin_metrics(x["margin_trading"]), DAY),
+        Derived(
+            "margin_metrics",
+            {"margin_trading": Input(scope="day")},
+            lambda x: metrics.margin_metrics(x["margin_trading"]),
+            DAY,
+        ),
         Derived(
             "short_interest_metrics",
             {"securities_lending": Input(scope="day")},
@@ -128,7 +140,11 @@ def derived_datasets(
         ),
         Derived(
             "valuation_metrics",
-            {"daily_prices": prices, "financial_reports": Input(restarts=False), "financial_report_facts": Input(restarts=False)},
+            {
+                "daily_prices": prices,
+                "financial_reports": Input(restarts=False),
+                "financial_report_facts": Input(restarts=False),
+            },
             _valuations,
             WHOLE,
             more_changes=_report_changes,
@@ -149,8 +165,11 @@ def changes(dataset: Derived, inputs: Mapping[str, DataFrame], since: Column) ->
     return reduce(DataFrame.unionByName, found).groupBy(*SERIES).agg(F.min("start").alias("start"))
 
 
-def latest_inputs(dataset: Derived, inputs: Mapping[str, DataFrame], keys: Mapping[str, tuple[str, ...]]) -> dict[str, DataFrame]:
-    """The latest row of every key of every input (``keys`` by input; none: rows are as they should be), in the series' sources."""
+def latest_inputs(
+    dataset: Derived, inputs: Mapping[str, DataFrame], keys: Mapping[str, tuple[str, ...]]
+) -> dict[str, DataFrame]:
+    """The latest row of every key of every input (``keys`` by input; none: rows are as they should be), in the
+    series' sources."""
     out = {}
     for name, i in dataset.inputs.items():
         rows = latest_per_key(inputs[name], keys[name]) if keys.get(name) else inputs[name]
@@ -166,7 +185,8 @@ def run(
     computed_at: Column,
     keys: Mapping[str, tuple[str, ...]] | None = None,
 ) -> DataFrame:
-    """The rows of the touched series after one run: what is stored before a series' first change, and fresh rows from there on.
+    """The rows of the touched series after one run: what is stored before a series' first change, and fresh rows from
+    there on.
 
     ``inputs`` hold all versions recorded so far (``recorded_at``), ``keys`` what identifies a row in each. Without
     ``stored`` or ``since`` everything is computed. The result is what a sink replaces series by series
@@ -195,13 +215,17 @@ def run(
     if dataset.restart:
         w = Window.partitionBy(*SERIES).orderBy(dataset.date)
         marked = fresh.join(changed.select(*SERIES, "start"), list(SERIES)).withColumn("__n", F.row_number().over(w))
-        first = marked.where(F.col(dataset.date) >= F.col("start")).withColumn("__first", F.row_number().over(w)).where("__first = 1")
+        first = marked.where(
+            F.col(dataset.date) >= F.col("start")
+        ).withColumn("__first", F.row_number().over(w)).where("__first = 1")
         spans = reduce(lambda a, b: a | b, [F.abs(c) == F.col("__n") for c in dataset.restart])
         again = first.where(spans).select(*SERIES)
         restarted = changed.join(again, list(SERIES), "left_semi")
         fresh = fresh.join(again, list(SERIES), "left_anti").unionByName(dataset.compute(near(restarted, whole=True)))
     touched = stored.join(changed.select(*SERIES), list(SERIES), "left_semi")
-    return replace_series(touched, fresh.withColumn("computed_at", computed_at), changed.select(*SERIES, "start"), dataset.date)
+    return replace_series(
+        touched, fresh.withColumn("computed_at", computed_at), changed.select(*SERIES, "start"), dataset.date
+    )
 
 
 def merged(stored: DataFrame, touched: DataFrame) -> DataFrame:

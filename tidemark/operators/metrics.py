@@ -25,7 +25,8 @@ def _frame(series: Sequence[str], date: str, n: int):
 
 
 def moving_average(column: str, n: int, series: Sequence[str] = SERIES, date: str = "trade_date") -> Column:
-    """Mean of the last n rows, null unless all n values are present (F1, F2). Summed as decimals, so the order of rows doesn't matter."""
+    """Mean of the last n rows, null unless all n values are present (F1, F2). Summed as decimals, so the order of
+    rows doesn't matter."""
     w = _frame(series, date, n)
     return F.when(F.count(column).over(w) == n, F.sum(F.col(column).cast("decimal(28,6)")).over(w).cast("double") / n)
 
@@ -45,7 +46,12 @@ def moving_averages(bars: DataFrame, series: Sequence[str] = SERIES, date: str =
     run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     sums = []
     for c in ("close", "volume"):
-        sums += [F.coalesce(F.sum(F.col(c).cast("decimal(20,6)")).over(run), F.lit(0).cast("decimal(30,6)")).alias(f"__{c}_s"), F.count(c).over(run).alias(f"__{c}_n")]
+        sums += [
+            F.coalesce(
+                F.sum(F.col(c).cast("decimal(20,6)")).over(run), F.lit(0).cast("decimal(30,6)")
+            ).alias(f"__{c}_s"),
+            F.count(c).over(run).alias(f"__{c}_n"),
+        ]
     out = []
     for c, name in (("close", "ma"), ("volume", "vma")):
         for n in WINDOWS:
@@ -55,10 +61,14 @@ def moving_averages(bars: DataFrame, series: Sequence[str] = SERIES, date: str =
     return bars.select("*", *sums).select(*bars.columns, *out)
 
 
-def bollinger(bars: DataFrame, n: int = 20, width: float = 2.0, series: Sequence[str] = SERIES, date: str = "trade_date") -> DataFrame:
+def bollinger(
+    bars: DataFrame, n: int = 20, width: float = 2.0, series: Sequence[str] = SERIES, date: str = "trade_date"
+) -> DataFrame:
     """bb_middle, bb_upper and bb_lower."""
     mid, dev = moving_average("close", n, series, date), rolling_deviation("close", n, series, date)
-    return bars.withColumn("bb_middle", mid).withColumn("__dev", dev).withColumn("bb_upper", F.col("bb_middle") + width * F.col("__dev")).withColumn("bb_lower", F.col("bb_middle") - width * F.col("__dev")).drop("__dev")
+    return bars.withColumn("bb_middle", mid).withColumn("__dev", dev).withColumn(
+        "bb_upper", F.col("bb_middle") + width * F.col("__dev")
+    ).withColumn("bb_lower", F.col("bb_middle") - width * F.col("__dev")).drop("__dev")
 
 
 NEUTRAL_RSV = 50.0
@@ -94,7 +104,9 @@ def recurrences(bars: DataFrame, series: Sequence[str] = SERIES, date: str = "tr
     """K and D (F8), RSI (F9) and MACD (F10) of bars that carry ``rsv``. One task per series: the recurrence
     runs along the whole series."""
     cols = [c for c in bars.columns if c != "rsv"]
-    schema = T.StructType([*[f for f in bars.schema.fields if f.name != "rsv"], *[T.StructField(n, T.DoubleType()) for n in RECURRENT]])
+    schema = T.StructType(
+        [*[f for f in bars.schema.fields if f.name != "rsv"], *[T.StructField(n, T.DoubleType()) for n in RECURRENT]]
+    )
 
     def along(group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values(date, kind="stable").reset_index(drop=True)
@@ -103,7 +115,10 @@ def recurrences(bars: DataFrame, series: Sequence[str] = SERIES, date: str = "tr
         dif = ewm(close, 2 / 13, False, 1) - ewm(close, 2 / 27, False, 1)
         dea = ewm(dif, 2 / 10, False, 1)
         out = group[cols].copy()
-        for name, values in zip(RECURRENT, (k, ewm(k, 1 / 3, False, 1), relative_strength(close, 6), relative_strength(close, 12), dif, dea, dif - dea)):
+        for name, values in zip(
+            RECURRENT,
+            (k, ewm(k, 1 / 3, False, 1), relative_strength(close, 6), relative_strength(close, 12), dif, dea, dif - dea),
+        ):
             out[name] = values
         return out
 
@@ -111,7 +126,20 @@ def recurrences(bars: DataFrame, series: Sequence[str] = SERIES, date: str = "tr
 
 
 #: The metrics of the panel, in their order.
-METRICS = (*(f"ma{n}" for n in WINDOWS), *(f"vma{n}" for n in WINDOWS), "k", "d", "rsi6", "rsi12", "macd_dif", "macd_dea", "macd_hist", "bb_upper", "bb_middle", "bb_lower")
+METRICS = (
+    *(f"ma{n}" for n in WINDOWS),
+    *(f"vma{n}" for n in WINDOWS),
+    "k",
+    "d",
+    "rsi6",
+    "rsi12",
+    "macd_dif",
+    "macd_dea",
+    "macd_hist",
+    "bb_upper",
+    "bb_middle",
+    "bb_lower",
+)
 
 
 def technical_panel(bars: DataFrame, series: Sequence[str] = SERIES, date: str = "trade_date") -> DataFrame:
@@ -122,29 +150,41 @@ def technical_panel(bars: DataFrame, series: Sequence[str] = SERIES, date: str =
     return recurrences(windowed, series, date).select(*series, date, *METRICS)
 
 
-def streaks(rows: DataFrame, columns: Sequence[str], series: Sequence[str] = SERIES, date: str = "trade_date") -> DataFrame:
+def streaks(
+    rows: DataFrame, columns: Sequence[str], series: Sequence[str] = SERIES, date: str = "trade_date"
+) -> DataFrame:
     """Signed run length of each column's sign; null and zero are 0 and restart."""
     w = Window.partitionBy(*series).orderBy(date)
     out = rows
     for c in columns:
         sign = F.coalesce(F.signum(F.col(c).cast("double")), F.lit(0.0)).cast("int")
-        out = out.withColumn(f"__{c}_s", sign).withColumn(f"__{c}_n", F.sum(F.when(F.col(f"__{c}_s") != F.coalesce(F.lag(f"__{c}_s").over(w), F.lit(9)), 1).otherwise(0)).over(w))
+        out = out.withColumn(f"__{c}_s", sign).withColumn(
+            f"__{c}_n",
+            F.sum(F.when(F.col(f"__{c}_s") != F.coalesce(F.lag(f"__{c}_s").over(w), F.lit(9)), 1).otherwise(0)).over(w),
+        )
     for c in columns:
         run = Window.partitionBy(*series, f"__{c}_n").orderBy(date)
-        out = out.withColumn(f"{c}_streak_days", F.col(f"__{c}_s") * F.row_number().over(run)).drop(f"__{c}_s", f"__{c}_n")
+        out = out.withColumn(
+            f"{c}_streak_days", F.col(f"__{c}_s") * F.row_number().over(run)
+        ).drop(f"__{c}_s", f"__{c}_n")
     return out
 
 
 def traded_axis(flows: DataFrame, bars: DataFrame, sources: DataFrame) -> DataFrame:
-    """Flows on the days their price source traded (F13): bars with volume, flow left-joined; a missing flow has no side.
+    """Flows on the days their price source traded (F13): bars with volume, flow left-joined; a missing flow has no
+    side.
 
     ``sources`` maps a flow source to its price source (F30); it is a handful of rows.
     """
-    axis = bars.where("volume > 0").select("stock_id", F.col("source").alias("price_source"), "trade_date").join(sources.select("source", "price_source"), "price_source").drop("price_source")
+    axis = bars.where("volume > 0").select(
+        "stock_id", F.col("source").alias("price_source"), "trade_date"
+    ).join(sources.select("source", "price_source"), "price_source").drop("price_source")
     return axis.join(flows, ["stock_id", "source", "trade_date"], "left")
 
 
-def cumulative_flow(rows: DataFrame, column: str, series: Sequence[str] = SERIES, date: str = "trade_date", out: str = "cumulative_net") -> DataFrame:
+def cumulative_flow(
+    rows: DataFrame, column: str, series: Sequence[str] = SERIES, date: str = "trade_date", out: str = "cumulative_net"
+) -> DataFrame:
     """Running sum from zero; null adds nothing."""
     w = Window.partitionBy(*series).orderBy(date).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return rows.withColumn(out, F.coalesce(F.sum(column).over(w), F.lit(0)))
@@ -155,7 +195,9 @@ def flow_ratio(cumulative: Column, issued: Column) -> Column:
     return round_15_digits(guarded_ratio(cumulative, issued, 100.0))
 
 
-def cumulative_ratio(rows: DataFrame, holdings: DataFrame, cumulative: str = "cumulative_net", out: str = "cumulative_ratio") -> DataFrame:
+def cumulative_ratio(
+    rows: DataFrame, holdings: DataFrame, cumulative: str = "cumulative_net", out: str = "cumulative_ratio"
+) -> DataFrame:
     """Cumulative flow over same-day issued shares in percent (F15), null without issued shares."""
     day = holdings.select("stock_id", "trade_date", "issued_shares")
     joined = rows.join(day, ["stock_id", "trade_date"], "left")
@@ -170,12 +212,30 @@ def concentration(snapshots: DataFrame, series: Sequence[str] = SERIES, date: st
     sums and rounded last (F17). A missing level makes its group null."""
     w = Window.partitionBy(*series).orderBy(date)
     exact = {g: strict_sum(*[F.col(f"percent_{i}") for i in levels]) for g, levels in GROUPS.items()}
-    out = snapshots.select(*series, date, *[exact[g].alias(f"__{g}") for g in GROUPS], *[strict_sum(*[F.col(f"holders_{i}") for i in GROUPS[g]]).alias(f"{g}_holder_count") for g in ("large", "small")])
+    out = snapshots.select(
+        *series,
+        date,
+        *[exact[g].alias(f"__{g}") for g in GROUPS],
+        *[
+            strict_sum(*[F.col(f"holders_{i}") for i in GROUPS[g]]).alias(f"{g}_holder_count")
+            for g in ("large", "small")
+        ],
+    )
     out = out.withColumn("__spread", strict_difference(F.col("__large"), F.col("__small")))
-    named = {"large": "large_holder_ratio", "mid": "mid_holder_ratio", "small": "small_holder_ratio", "spread": "concentration_spread"}
+    named = {
+        "large": "large_holder_ratio",
+        "mid": "mid_holder_ratio",
+        "small": "small_holder_ratio",
+        "spread": "concentration_spread",
+    }
     cols = []
     for g, name in named.items():
-        cols += [round_half_up(F.col(f"__{g}"), 2).cast("double").alias(name), round_half_up(strict_difference(F.col(f"__{g}"), F.lag(f"__{g}").over(w)), 2).cast("double").alias(f"{name}_wow")]
+        cols += [
+            round_half_up(F.col(f"__{g}"), 2).cast("double").alias(name),
+            round_half_up(
+                strict_difference(F.col(f"__{g}"), F.lag(f"__{g}").over(w)), 2
+            ).cast("double").alias(f"{name}_wow"),
+        ]
     return out.select(*series, date, *cols, "large_holder_count", "small_holder_count")
 
 
@@ -185,14 +245,31 @@ def margin_metrics(margin: DataFrame) -> DataFrame:
     cols = []
     for side in ("margin", "short"):
         balance, before = F.col(f"{side}_balance"), F.col(f"{side}_previous_balance")
-        cols += [round_15_digits(guarded_ratio(balance, F.col(f"{side}_limit"))).alias(f"{side}_usage_ratio"), strict_difference(balance, before).alias(f"{side}_balance_change"), round_15_digits(guarded_ratio(strict_difference(balance, before), before)).alias(f"{side}_balance_change_pct")]
-    return margin.select(*out, *cols, round_15_digits(guarded_ratio(F.col("short_balance"), F.col("margin_balance"))).alias("short_cover_pressure"))
+        cols += [
+            round_15_digits(guarded_ratio(balance, F.col(f"{side}_limit"))).alias(f"{side}_usage_ratio"),
+            strict_difference(balance, before).alias(f"{side}_balance_change"),
+            round_15_digits(guarded_ratio(strict_difference(balance, before), before)).alias(
+                f"{side}_balance_change_pct"
+            ),
+        ]
+    return margin.select(
+        *out,
+        *cols,
+        round_15_digits(guarded_ratio(F.col("short_balance"), F.col("margin_balance"))).alias("short_cover_pressure"),
+    )
 
 
 def short_interest_metrics(lending: DataFrame) -> DataFrame:
     """Balance change, change percent, and sold over returned."""
     change = strict_difference(F.col("balance"), F.col("previous_balance"))
-    return lending.select("stock_id", "source", "trade_date", change.alias("sbl_balance_change"), round_15_digits(guarded_ratio(change, F.col("previous_balance"))).alias("sbl_balance_change_pct"), round_15_digits(guarded_ratio(F.col("sold"), F.col("returned"), 1.0)).alias("sbl_sell_repay_ratio"))
+    return lending.select(
+        "stock_id",
+        "source",
+        "trade_date",
+        change.alias("sbl_balance_change"),
+        round_15_digits(guarded_ratio(change, F.col("previous_balance"))).alias("sbl_balance_change_pct"),
+        round_15_digits(guarded_ratio(F.col("sold"), F.col("returned"), 1.0)).alias("sbl_sell_repay_ratio"),
+    )
 
 
 def event_factor(reference: Column, close_before: Column) -> Column:
@@ -200,32 +277,57 @@ def event_factor(reference: Column, close_before: Column) -> Column:
     return F.when((close_before != 0) & (reference != 0), reference.cast("double") / close_before.cast("double"))
 
 
-def cumulative_factors(bars: DataFrame, events: DataFrame, series: Sequence[str] = SERIES, date: str = "trade_date") -> DataFrame:
+def cumulative_factors(
+    bars: DataFrame, events: DataFrame, series: Sequence[str] = SERIES, date: str = "trade_date"
+) -> DataFrame:
     """``factor`` of every bar (F28): the product of the factors of events after its date and up to the series'
     last bar; null if any of them is unknown. ``events`` has the series, ``ex_date`` and ``event_factor``.
 
     Bars and events are united and scanned backwards in one window; the event of a date doesn't scale that date.
     """
     cols = bars.columns
-    rows = bars.withColumn("event_factor", F.lit(None).cast("double")).withColumn("__event", F.lit(0)).withColumn("__d", F.col(date))
-    marks = events.select(*[F.col(c) if c in series else F.lit(None).cast(bars.schema[c].dataType).alias(c) for c in cols], F.col("event_factor").cast("double").alias("event_factor"), F.lit(1).alias("__event"), F.col("ex_date").alias("__d"))
-    w = Window.partitionBy(*series).orderBy(F.desc("__d"), "__event").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    both = rows.unionByName(marks).withColumn("__live", (F.col("__event") == 1) & (F.max(F.when(F.col("__event") == 0, F.col("__d"))).over(Window.partitionBy(*series)) >= F.col("__d")))
+    rows = bars.withColumn(
+        "event_factor", F.lit(None).cast("double")
+    ).withColumn("__event", F.lit(0)).withColumn("__d", F.col(date))
+    marks = events.select(
+        *[F.col(c) if c in series else F.lit(None).cast(bars.schema[c].dataType).alias(c) for c in cols],
+        F.col("event_factor").cast("double").alias("event_factor"),
+        F.lit(1).alias("__event"),
+        F.col("ex_date").alias("__d"),
+    )
+    w = Window.partitionBy(*series).orderBy(F.desc("__d"), "__event").rowsBetween(
+        Window.unboundedPreceding, Window.currentRow
+    )
+    both = rows.unionByName(marks).withColumn(
+        "__live",
+        (F.col("__event") == 1)
+        & (F.max(F.when(F.col("__event") == 0, F.col("__d"))).over(Window.partitionBy(*series)) >= F.col("__d")),
+    )
     unknown = F.max(F.when(F.col("__live") & F.col("event_factor").isNull(), 1).otherwise(0)).over(w) == 1
     product = F.coalesce(F.product(F.when(F.col("__live"), F.col("event_factor"))).over(w), F.lit(1.0))
     return both.withColumn("factor", F.when(~unknown, product)).where("__event = 0").select(*cols, "factor")
 
 
-def adjusted_prices(bars: DataFrame, events: DataFrame, sources: DataFrame, start: Column | None = None, end: Column | None = None) -> DataFrame:
+def adjusted_prices(
+    bars: DataFrame, events: DataFrame, sources: DataFrame, start: Column | None = None, end: Column | None = None
+) -> DataFrame:
     """Backward-adjusted open, high, low and close (F29); volume is untouched. The anchor is the last bar, not the asked
     window. Events come from a feed that is paired with a price source (F30); several events of a day multiply."""
-    paired = events.join(sources.select(F.col("source"), "price_source"), "source").select("stock_id", F.col("price_source").alias("source"), "ex_date", "event_factor")
+    paired = events.join(sources.select(F.col("source"), "price_source"), "source").select(
+        "stock_id", F.col("price_source").alias("source"), "ex_date", "event_factor"
+    )
     out = cumulative_factors(bars, paired)
-    out = out.select(*[c for c in bars.columns], "factor", *[(F.col(c).cast("double") * F.col("factor")).alias(f"adjusted_{c}") for c in ("open", "high", "low", "close")])
+    out = out.select(
+        *[c for c in bars.columns],
+        "factor",
+        *[(F.col(c).cast("double") * F.col("factor")).alias(f"adjusted_{c}") for c in ("open", "high", "low", "close")],
+    )
     return out.where(F.col("trade_date").between(start, end)) if start is not None else out
 
 
 def applied_events(bars: DataFrame, events: DataFrame, start: Column) -> DataFrame:
     """The events that scale a window's prices (F31): after its start and up to the series' last bar."""
     last = bars.groupBy("stock_id", "source").agg(F.max("trade_date").alias("__last"))
-    return events.join(last, ["stock_id", "source"]).where((F.col("ex_date") > start) & (F.col("ex_date") <= F.col("__last"))).drop("__last")
+    return events.join(last, ["stock_id", "source"]).where(
+        (F.col("ex_date") > start) & (F.col("ex_date") <= F.col("__last"))
+    ).drop("__last")

@@ -39,12 +39,21 @@ def with_available_at(df: DataFrame, keys: Sequence[str], period: str, rule: Rul
 
 
 def with_published_at(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Published family (E6): a key's first row is public at its stored ``published_at`` (null: never), later rows when recorded."""
+    """Published family (E6): a key's first row is public at its stored ``published_at`` (null: never), later rows
+    when recorded."""
     first = F.min("recorded_at").over(Window.partitionBy(*keys))
-    return df.withColumn("available_at", F.when(F.col("recorded_at") == first, F.col("published_at")).otherwise(F.col("recorded_at")))
+    return df.withColumn(
+        "available_at", F.when(F.col("recorded_at") == first, F.col("published_at")).otherwise(F.col("recorded_at"))
+    )
 
 
-def market_pit(available: DataFrame, keys: Sequence[str], information_as_of: Column, knowledge_as_of: Column, hidden: str | None = None) -> DataFrame:
+def market_pit(
+    available: DataFrame,
+    keys: Sequence[str],
+    information_as_of: Column,
+    knowledge_as_of: Column,
+    hidden: str | None = None,
+) -> DataFrame:
     """What the market could see at ``information_as_of``, from rows recorded by ``knowledge_as_of``.
 
     ``available`` carries ``available_at``. A key whose visible row is a retraction (column ``hidden``) vanishes; the
@@ -63,18 +72,26 @@ def system_pit(df: DataFrame, keys: Sequence[str], system_as_of: Column, hidden:
 
 def late_keys(available: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Keys with more than one row and the latest row's ``available_at``."""
-    stats = available.groupBy(*keys).agg(F.count("*").alias("n"), F.max_by("available_at", "recorded_at").alias("late_at"))
+    stats = available.groupBy(*keys).agg(
+        F.count("*").alias("n"), F.max_by("available_at", "recorded_at").alias("late_at")
+    )
     return stats.where("n > 1").drop("n")
 
 
 def late_reports(reports: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Reports with several versions: (first publication day in Taipei, last version's ``recorded_at``)."""
-    stats = reports.groupBy(*keys).agg(F.count("*").alias("n"), F.min_by("published_at", "recorded_at").alias("p"), F.max("recorded_at").alias("late_at"))
+    stats = reports.groupBy(*keys).agg(
+        F.count("*").alias("n"),
+        F.min_by("published_at", "recorded_at").alias("p"),
+        F.max("recorded_at").alias("late_at"),
+    )
     day = F.convert_timezone(F.lit("UTC"), F.lit("Asia/Taipei"), F.col("p")).cast("date")
     return stats.where("n > 1").select(*keys, day.alias("observed_on"), "late_at")
 
 
-def derived_available_at(rows: DataFrame, late: DataFrame, series: Sequence[str], date: str, rule: Rule, scope: str = "history") -> DataFrame:
+def derived_available_at(
+    rows: DataFrame, late: DataFrame, series: Sequence[str], date: str, rule: Rule, scope: str = "history"
+) -> DataFrame:
     """``available_at`` of derived rows (E13): their own release instant, or the latest late correction among
     inputs at or before their date (scope ``history``) or on their date (scope ``day``), whichever is later.
 
@@ -84,13 +101,21 @@ def derived_available_at(rows: DataFrame, late: DataFrame, series: Sequence[str]
     own = rule(F.col(date))
     if scope == "day":
         day = late.groupBy(*series, date).agg(F.max("late_at").alias("late_at"))
-        return rows.join(day, [*series, date], "left").withColumn("available_at", F.greatest(own, F.col("late_at"))).drop("late_at")
+        return rows.join(day, [*series, date], "left").withColumn(
+            "available_at", F.greatest(own, F.col("late_at"))
+        ).drop("late_at")
     cols = rows.columns
     marked = rows.select(*cols, F.lit(None).cast("timestamp_ntz").alias("late_at"), F.lit(1).alias("__row"))
-    events = late.select(*[F.col(c) if c in (*series, date) else F.lit(None).cast(rows.schema[c].dataType).alias(c) for c in cols], "late_at", F.lit(0).alias("__row"))
+    events = late.select(
+        *[F.col(c) if c in (*series, date) else F.lit(None).cast(rows.schema[c].dataType).alias(c) for c in cols],
+        "late_at",
+        F.lit(0).alias("__row"),
+    )
     w = Window.partitionBy(*series).orderBy(date, "__row").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     running = marked.unionByName(events).withColumn("late_at", F.max("late_at").over(w))
-    return running.where("__row = 1").withColumn("available_at", F.greatest(own, F.col("late_at"))).drop("late_at", "__row")
+    return running.where("__row = 1").withColumn(
+        "available_at", F.greatest(own, F.col("late_at"))
+    ).drop("late_at", "__row")
 
 
 def rolling_segments(available: DataFrame, series: Sequence[str], date: str, rule: Rule) -> DataFrame:
@@ -104,42 +129,76 @@ def rolling_segments(available: DataFrame, series: Sequence[str], date: str, rul
     dates = available.select(*series, date).distinct()
     w = Window.partitionBy(*series).orderBy(date)
     axis = dates.withColumn("__at", rule(F.col(date)))
-    events = available.where(F.col("available_at") > rule(F.col(date))).select(*series, F.col(date).alias("__of"), F.col("available_at").alias("__at")).distinct()
-    both = axis.select(*series, F.col(date).alias("__day"), F.lit(None).cast("date").alias("__of"), "__at", F.lit(1).alias("__kind"))
-    both = both.unionByName(events.select(*series, F.lit(None).cast("date").alias("__day"), "__of", "__at", F.lit(0).alias("__kind")))
+    events = available.where(F.col("available_at") > rule(F.col(date))).select(
+        *series, F.col(date).alias("__of"), F.col("available_at").alias("__at")
+    ).distinct()
+    both = axis.select(
+        *series, F.col(date).alias("__day"), F.lit(None).cast("date").alias("__of"), "__at", F.lit(1).alias("__kind")
+    )
+    both = both.unionByName(
+        events.select(*series, F.lit(None).cast("date").alias("__day"), "__of", "__at", F.lit(0).alias("__kind"))
+    )
     ordered = Window.partitionBy(*series).orderBy("__at", "__kind")
     placed = both.withColumn("__prev", F.last("__day", True).over(ordered.rowsBetween(Window.unboundedPreceding, -1)))
     cut = placed.withColumn("__cut", (F.col("__kind") == 0) & (F.col("__of") <= F.col("__prev")))
     block = cut.withColumn("__block", F.count("__day").over(ordered.rowsBetween(Window.unboundedPreceding, -1)))
-    cuts = block.groupBy(*series, "__block").agg(F.max("__day").alias(date), F.coalesce(F.max("__cut"), F.lit(False)).alias("__cut")).where(F.col(date).isNotNull())
+    cuts = block.groupBy(*series, "__block").agg(
+        F.max("__day").alias(date), F.coalesce(F.max("__cut"), F.lit(False)).alias("__cut")
+    ).where(F.col(date).isNotNull())
     first = F.row_number().over(w) == 1
-    return cuts.withColumn("__starts", (first | F.col("__cut")).cast("int")).withColumn("segment", F.sum("__starts").over(w)).select(*series, date, "segment")
+    return cuts.withColumn("__starts", (first | F.col("__cut")).cast("int")).withColumn(
+        "segment", F.sum("__starts").over(w)
+    ).select(
+        *series, date, "segment"
+    )
 
 
-def rolling_as_of(available: DataFrame, series: Sequence[str], date: str, rule: Rule, compute: Callable[[DataFrame, list[str]], DataFrame], lookback: int | None = None) -> DataFrame:
+def rolling_as_of(
+    available: DataFrame,
+    series: Sequence[str],
+    date: str,
+    rule: Rule,
+    compute: Callable[[DataFrame, list[str]], DataFrame],
+    lookback: int | None = None,
+) -> DataFrame:
     """Each date's metrics as the market saw them at that date's own release instant.
 
     Versions are joined with the segments (equal series, available by the segment's last instant, date not after its
-    last date), the latest per date is kept, and ``compute(rows, series + ["segment"])`` runs once per segment. Metrics that
-    reach back a fixed number of dates name it as ``lookback``: a version then meets only the segments within its reach, by an
-    equality join on the date's number, instead of every later segment of the series.
+    last date), the latest per date is kept, and ``compute(rows, series + ["segment"])`` runs once per segment.
+    Metrics that reach back a fixed number of dates name it as ``lookback``: a version then meets only the segments
+    within its reach, by an equality join on the date's number, instead of every later segment of the series.
     """
     segments = rolling_segments(available, series, date, rule)
     if lookback:
         axis = segments.withColumn("__i", F.row_number().over(Window.partitionBy(*series).orderBy(date)))
-        cutoffs = axis.withColumn("__cutoff", rule(F.max(date).over(Window.partitionBy(*series, "segment")))).select(*series, F.col("__i").alias("__j"), "segment", "__cutoff")
-        placed = available.join(axis.drop("segment"), [*series, date]).withColumn("__j", F.explode(F.sequence("__i", F.col("__i") + lookback - 1))).drop("__i")
-        near = placed.join(cutoffs, [*series, "__j"]).where(F.col("available_at") <= F.col("__cutoff")).drop("__j", "__cutoff")
+        cutoffs = axis.withColumn("__cutoff", rule(F.max(date).over(Window.partitionBy(*series, "segment")))).select(
+            *series, F.col("__i").alias("__j"), "segment", "__cutoff"
+        )
+        placed = available.join(axis.drop("segment"), [*series, date]).withColumn(
+            "__j", F.explode(F.sequence("__i", F.col("__i") + lookback - 1))
+        ).drop("__i")
+        near = placed.join(cutoffs, [*series, "__j"]).where(
+            F.col("available_at") <= F.col("__cutoff")
+        ).drop("__j", "__cutoff")
         visible = latest_per_key(near, [*series, "segment", date])
-        return compute(visible, [*series, "segment"]).join(segments, [*series, "segment", date], "left_semi").drop("segment")
-    spans = segments.groupBy(*series, "segment").agg(F.max(date).alias("__last")).withColumn("__cutoff", rule(F.col("__last")))
-    seen = available.join(spans, list(series)).where((F.col("available_at") <= F.col("__cutoff")) & (F.col(date) <= F.col("__last")))
+        return compute(visible, [*series, "segment"]).join(
+            segments, [*series, "segment", date], "left_semi"
+        ).drop("segment")
+    spans = segments.groupBy(*series, "segment").agg(F.max(date).alias("__last")).withColumn(
+        "__cutoff", rule(F.col("__last"))
+    )
+    seen = available.join(spans, list(series)).where(
+        (F.col("available_at") <= F.col("__cutoff")) & (F.col(date) <= F.col("__last"))
+    )
     visible = latest_per_key(seen.drop("__last", "__cutoff"), [*series, "segment", date])
-    return compute(visible, [*series, "segment"]).join(segments, [*series, "segment", date], "left_semi").drop("segment")
+    return compute(visible, [*series, "segment"]).join(
+        segments, [*series, "segment", date], "left_semi"
+    ).drop("segment")
 
 
 def with_lineage(df: DataFrame, series: Sequence[str], date: str) -> DataFrame:
-    """``input_count`` and ``input_fingerprint`` (E18): SHA-256 over ``date@recorded`` of all rows up to a date, comma-joined.
+    """``input_count`` and ``input_fingerprint`` (E18): SHA-256 over ``date@recorded`` of all rows up to a date,
+    comma-joined.
 
     Instants are written to the microsecond, without a fraction where there is none. One digest runs along each
     series, so a row costs the same however long the series before it; only keys and instants go through it.
@@ -177,14 +236,25 @@ def single_source(df: DataFrame, stocks: DataFrame | None = None) -> DataFrame:
     return df.join(per_stock.where("a = z").select("stock_id"), "stock_id", "left_semi")
 
 
-def report_facts(versions: DataFrame, facts: DataFrame, statements: Sequence[str] | None = None, accounts: Sequence[str] | None = None, limit: int | None = None) -> DataFrame:
-    """Each report version's own facts, ordered (E12). With ``limit`` one more row is returned, by which an overflow shows."""
+def report_facts(
+    versions: DataFrame,
+    facts: DataFrame,
+    statements: Sequence[str] | None = None,
+    accounts: Sequence[str] | None = None,
+    limit: int | None = None,
+) -> DataFrame:
+    """Each report version's own facts, ordered (E12). With ``limit`` one more row is returned, by which an overflow
+    shows."""
     if statements:
         facts = facts.where(F.col("statement").isin(list(statements)))
     if accounts:
         facts = facts.where(F.col("account_code").isin(list(accounts)))
-    joined = facts.join(versions.select(F.col("id").alias("report_id"), "stock_id", "report_year", "report_quarter"), "report_id")
-    order = ["stock_id", "report_year", "report_quarter", "report_id", "statement", "account_code", "concept", "period_end"]
+    joined = facts.join(
+        versions.select(F.col("id").alias("report_id"), "stock_id", "report_year", "report_quarter"), "report_id"
+    )
+    order = [
+        "stock_id", "report_year", "report_quarter", "report_id", "statement", "account_code", "concept", "period_end"
+    ]
     return joined.orderBy(*order).limit(limit + 1) if limit is not None else joined
 
 
@@ -192,8 +262,11 @@ def report_facts(versions: DataFrame, facts: DataFrame, statements: Sequence[str
 MAX_PROBES = 1_000
 
 
-def look_ahead_audit(available: DataFrame, keys: Sequence[str], probes: DataFrame, visible_from: Column | None = None) -> DataFrame:
-    """(probe, leaked, visible) at every probe instant (E22): visible rows of the probe, and those that became public after it.
+def look_ahead_audit(
+    available: DataFrame, keys: Sequence[str], probes: DataFrame, visible_from: Column | None = None
+) -> DataFrame:
+    """(probe, leaked, visible) at every probe instant (E22): visible rows of the probe, and those that became public
+    after it.
 
     ``visible_from`` is the read under test: the instant from which it shows a row (by default the later of available_at
     and recorded_at, as ``market_pit`` does). A row is shown until a later recorded row of its key is, so every row
@@ -224,11 +297,27 @@ def look_ahead_audit(available: DataFrame, keys: Sequence[str], probes: DataFram
     ends = F.array(
         F.struct(F.col("a").alias("i"), F.lit(1).alias("v"), F.lit(0).alias("n")),
         F.struct(F.col("z").alias("i"), F.lit(-1).alias("v"), F.lit(0).alias("n")),
-        F.struct(F.col("a").alias("i"), F.lit(0).alias("v"), F.when(F.col("a") < F.least("z", "p"), 1).otherwise(0).alias("n")),
-        F.struct(F.least("z", "p").alias("i"), F.lit(0).alias("v"), F.when(F.col("a") < F.least("z", "p"), -1).otherwise(0).alias("n")),
+        F.struct(
+            F.col("a").alias("i"),
+            F.lit(0).alias("v"),
+            F.when(F.col("a") < F.least("z", "p"), 1).otherwise(0).alias("n"),
+        ),
+        F.struct(
+            F.least("z", "p").alias("i"),
+            F.lit(0).alias("v"),
+            F.when(F.col("a") < F.least("z", "p"), -1).otherwise(0).alias("n"),
+        ),
+    )
+    steps = placed.where("a < z").select(F.explode(ends).alias("e")).groupBy("e.i").agg(
+        F.sum("e.v").alias("v"), F.sum("e.n").alias("n")
+    )
+    axis = probes.sparkSession.range(len(at)).select(
+        F.col("id").cast("int").alias("i"), F.element_at(instants, F.col("id").cast("int") + 1).alias("probe")
     )
-    steps = placed.where("a < z").select(F.explode(ends).alias("e")).groupBy("e.i").agg(F.sum("e.v").alias("v"), F.sum("e.n").alias("n"))
-    axis = probes.sparkSession.range(len(at)).select(F.col("id").cast("int").alias("i"), F.element_at(instants, F.col("id").cast("int") + 1).alias("probe"))
     run = Window.orderBy("i").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    counted = axis.join(steps, "i", "left").select("probe", F.coalesce(F.sum("n").over(run), F.lit(0)).alias("leaked"), F.coalesce(F.sum("v").over(run), F.lit(0)).alias("visible"))
+    counted = axis.join(steps, "i", "left").select(
+        "probe",
+        F.coalesce(F.sum("n").over(run), F.lit(0)).alias("leaked"),
+        F.coalesce(F.sum("v").over(run), F.lit(0)).alias("visible"),
+    )
     return probes.join(counted, "probe")

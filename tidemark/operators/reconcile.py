@@ -19,15 +19,33 @@ def merge_sides(sides: Mapping[str, DataFrame], keys: Sequence[str]) -> DataFram
     types: dict[str, str] = {}
     for name, df in sides.items():
         types |= {f"{name}_{c}": t for c, t in df.dtypes if c not in keys}
-    parts = [df.select(*keys, *[(F.col(n.removeprefix(f"{name}_")) if n.startswith(f"{name}_") and n.removeprefix(f"{name}_") in df.columns else F.lit(None)).cast(t).alias(n) for n, t in types.items()], F.lit(name).alias("__side")) for name, df in sides.items()]
+    parts = [
+        df.select(
+            *keys,
+            *[
+                (
+                    F.col(n.removeprefix(f"{name}_"))
+                    if n.startswith(f"{name}_") and n.removeprefix(f"{name}_") in df.columns
+                    else F.lit(None)
+                ).cast(t).alias(n)
+                for n, t in types.items()
+            ],
+            F.lit(name).alias("__side"),
+        )
+        for name, df in sides.items()
+    ]
     both = parts[0]
     for p in parts[1:]:
         both = both.unionByName(p)
-    return both.groupBy(*keys).agg(*[F.max(n).alias(n) for n in types], *[F.bool_or(F.col("__side") == name).alias(f"has_{name}") for name in sides])
+    return both.groupBy(*keys).agg(
+        *[F.max(n).alias(n) for n in types],
+        *[F.bool_or(F.col("__side") == name).alias(f"has_{name}") for name in sides],
+    )
 
 
 def key_differences(merged: DataFrame) -> DataFrame:
-    """``key_class`` (J3): both, or which side alone, explained where its input is alone too. Sides: ours, our_input, theirs, their_input."""
+    """``key_class`` (J3): both, or which side alone, explained where its input is alone too. Sides: ours, our_input,
+    theirs, their_input."""
     kind = (
         F.when(F.col("has_ours") & F.col("has_theirs"), "both")
         .when(F.col("has_ours") & ~F.col("has_their_input"), "ours_only_input_missing_there")
@@ -39,13 +57,20 @@ def key_differences(merged: DataFrame) -> DataFrame:
     return merged.withColumn("key_class", kind)
 
 
-def captured_another_date(ours: DataFrame, theirs: DataFrame, mapping: DataFrame, keys: Sequence[str], value: str, date: str = "trade_date") -> DataFrame:
-    """Class of each common key (J4): equal, captured_another_date (theirs on D equals ours on the mapped date) or differ."""
+def captured_another_date(
+    ours: DataFrame, theirs: DataFrame, mapping: DataFrame, keys: Sequence[str], value: str, date: str = "trade_date"
+) -> DataFrame:
+    """Class of each common key (J4): equal, captured_another_date (theirs on D equals ours on the mapped date) or
+    differ."""
     a = ours.select(*keys, date, F.col(value).alias("mine"))
     b = theirs.select(*keys, date, F.col(value).alias("their_value"))
     other = ours.select(*keys, F.col(date).alias("mapped_date"), F.col(value).alias("mine_there"))
-    j = a.join(b, [*keys, date]).join(mapping.select(date, "mapped_date"), date, "left").join(other, [*keys, "mapped_date"], "left")
-    kind = F.when(F.col("mine").eqNullSafe(F.col("their_value")), "equal").when(F.col("mine_there").eqNullSafe(F.col("their_value")) & F.col("mapped_date").isNotNull(), "captured_another_date").otherwise("differ")
+    j = a.join(b, [*keys, date]).join(mapping.select(date, "mapped_date"), date, "left").join(
+        other, [*keys, "mapped_date"], "left"
+    )
+    kind = F.when(F.col("mine").eqNullSafe(F.col("their_value")), "equal").when(
+        F.col("mine_there").eqNullSafe(F.col("their_value")) & F.col("mapped_date").isNotNull(), "captured_another_date"
+    ).otherwise("differ")
     return j.select(*keys, date, "mine", "their_value", kind.alias("diff_class"))
 
 
@@ -60,40 +85,73 @@ def samples(differences: DataFrame, kind: str, order: Sequence[str], k: int = 10
     Each partition first keeps its own k per class, so a class with most of the rows sends k rows a task."""
     w = Window.partitionBy(kind).orderBy(*order)
     local = Window.partitionBy(kind, "__p").orderBy(*order)
-    few = differences.withColumn("__p", F.pmod(F.xxhash64(*order), F.lit(64))).withColumn("__n", F.row_number().over(local)).where(F.col("__n") <= k)
+    few = differences.withColumn(
+        "__p", F.pmod(F.xxhash64(*order), F.lit(64))
+    ).withColumn("__n", F.row_number().over(local)).where(F.col("__n") <= k)
     return few.withColumn("__n", F.row_number().over(w)).where(F.col("__n") <= k).drop("__n", "__p")
 
 
-def cumulative_drift(merged: DataFrame, ours_net: str, theirs_net: str, ours_sum: str, theirs_sum: str, series: Sequence[str] = SERIES, date: str = "trade_date") -> DataFrame:
-    """``drift`` (J7): the running difference of nets; a difference of sums equal to it is ``explained_by_net_drift``."""
+def cumulative_drift(
+    merged: DataFrame,
+    ours_net: str,
+    theirs_net: str,
+    ours_sum: str,
+    theirs_sum: str,
+    series: Sequence[str] = SERIES,
+    date: str = "trade_date",
+) -> DataFrame:
+    """``drift`` (J7): the running difference of nets; a difference of sums equal to it is
+    ``explained_by_net_drift``."""
     w = Window.partitionBy(*series).orderBy(date).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     drift = F.sum(F.coalesce(F.col(ours_net), F.lit(0)) - F.coalesce(F.col(theirs_net), F.lit(0))).over(w)
     gap = F.col(ours_sum) - F.col(theirs_sum)
-    kind = F.when(gap.isNull(), "one_sided").when(F.abs(gap) < 1e-9, "equal").when(F.abs(gap - F.col("drift")) < 1e-6, "explained_by_net_drift").otherwise("unexplained")
+    kind = F.when(gap.isNull(), "one_sided").when(F.abs(gap) < 1e-9, "equal").when(
+        F.abs(gap - F.col("drift")) < 1e-6, "explained_by_net_drift"
+    ).otherwise("unexplained")
     return merged.withColumn("drift", drift).withColumn("diff_class", kind)
 
 
-def ratio_classes(rows: DataFrame, known_dates: DataFrame, ours: str, theirs: str, issued: str, date: str = "trade_date", tolerance: float = 1e-4) -> DataFrame:
+def ratio_classes(
+    rows: DataFrame,
+    known_dates: DataFrame,
+    ours: str,
+    theirs: str,
+    issued: str,
+    date: str = "trade_date",
+    tolerance: float = 1e-4,
+) -> DataFrame:
     """Ratio differences (J8): equal, on a listed date, without issued shares, else unexplained."""
     d = known_dates.select(date).distinct().withColumn("__k", F.lit(True))
     j = rows.join(d, date, "left")
-    kind = F.when(F.col(ours).eqNullSafe(F.col(theirs)) | (F.abs(F.col(ours) - F.col(theirs)) <= tolerance), "equal").when(F.col("__k"), "known_date").when(F.col(issued).isNull(), "issued_shares_missing").otherwise("unexplained")
+    kind = F.when(
+        F.col(ours).eqNullSafe(F.col(theirs)) | (F.abs(F.col(ours) - F.col(theirs)) <= tolerance), "equal"
+    ).when(F.col("__k"), "known_date").when(F.col(issued).isNull(), "issued_shares_missing").otherwise("unexplained")
     return j.withColumn("diff_class", kind).drop("__k")
 
 
 def streak_classes(axis: DataFrame, series: Sequence[str] = SERIES, date: str = "trade_date") -> DataFrame:
-    """Streak differences (J9) on the united axis: rows have ours_streak, theirs_streak, ours_sign, theirs_sign, in_ours, in_theirs.
+    """Streak differences (J9) on the united axis: rows have ours_streak, theirs_streak, ours_sign, theirs_sign,
+    in_ours, in_theirs.
 
-    A difference reaches back max(|a|, |b|) + 1 rows. Instead of joining that run, the index of the last row where the axes
-    (or signs) differ is carried forward; it lies in the run if it is at most the reach back.
+    A difference reaches back max(|a|, |b|) + 1 rows. Instead of joining that run, the index of the last row where the
+    axes (or signs) differ is carried forward; it lies in the run if it is at most the reach back.
     """
     w = Window.partitionBy(*series).orderBy(date)
     run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     i = axis.withColumn("__i", F.row_number().over(w))
-    i = i.withColumn("__axis", F.max(F.when(F.col("in_ours") != F.col("in_theirs"), F.col("__i"))).over(run)).withColumn("__sign", F.max(F.when(F.coalesce("ours_sign", F.lit(0)) != F.coalesce("theirs_sign", F.lit(0)), F.col("__i"))).over(run))
+    i = i.withColumn(
+        "__axis", F.max(F.when(F.col("in_ours") != F.col("in_theirs"), F.col("__i"))).over(run)
+    ).withColumn(
+        "__sign",
+        F.max(F.when(F.coalesce("ours_sign", F.lit(0)) != F.coalesce("theirs_sign", F.lit(0)), F.col("__i"))).over(run),
+    )
     low = F.col("__i") - F.greatest(F.abs("ours_streak"), F.abs("theirs_streak"))
-    kind = F.when(F.col("__axis") >= low, "day_sets_differ").when(F.col("__sign") >= low, "net_sign_differs").otherwise("unexplained")
-    return i.where(F.col("in_ours") & F.col("in_theirs") & (F.col("ours_streak") != F.col("theirs_streak"))).withColumn("diff_class", kind).drop("__i", "__axis", "__sign")
+    kind = F.when(F.col("__axis") >= low, "day_sets_differ").when(
+        F.col("__sign") >= low, "net_sign_differs"
+    ).otherwise("unexplained")
+    return i.where(
+        F.col("in_ours") & F.col("in_theirs") & (F.col("ours_streak") != F.col("theirs_streak"))
+    ).withColumn("diff_class", kind).drop("__i", "__axis", "__sign")
 
 
 #: Upper bounds of difference magnitudes and their names.
@@ -107,49 +165,90 @@ def magnitude(gap: Column) -> Column:
     return out.otherwise("at_or_above_1")
 
 
-def indicator_classes(differences: DataFrame, axis: DataFrame, lengths: Mapping[str, int], transfers: DataFrame, series: Sequence[str] = SERIES, date: str = "trade_date") -> DataFrame:
-    """Indicator differences (J10): market transfer first, then whether the metric's window touches a dropped or a frozen-volume day.
-
-    ``differences`` has metric, ours, theirs; ``axis`` the series' days with flags dropped and frozen. The index of the last
-    flagged day is carried forward once; a window of n days touches it if it is less than n days back (no length: ever before).
+def indicator_classes(
+    differences: DataFrame,
+    axis: DataFrame,
+    lengths: Mapping[str, int],
+    transfers: DataFrame,
+    series: Sequence[str] = SERIES,
+    date: str = "trade_date",
+) -> DataFrame:
+    """Indicator differences (J10): market transfer first, then whether the metric's window touches a dropped or a
+    frozen-volume day.
+
+    ``differences`` has metric, ours, theirs; ``axis`` the series' days with flags dropped and frozen. The index of
+    the last flagged day is carried forward once; a window of n days touches it if it is less than n days back (no
+    length: ever before).
     """
     w = Window.partitionBy(*series).orderBy(date)
     run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     i = axis.withColumn("__i", F.row_number().over(w)).select(*series, date, "__i", "dropped", "frozen")
-    i = i.withColumn("__d", F.max(F.when(F.col("dropped"), F.col("__i"))).over(run)).withColumn("__f", F.max(F.when(F.col("frozen"), F.col("__i"))).over(run)).drop("dropped", "frozen")
+    i = i.withColumn(
+        "__d", F.max(F.when(F.col("dropped"), F.col("__i"))).over(run)
+    ).withColumn("__f", F.max(F.when(F.col("frozen"), F.col("__i"))).over(run)).drop("dropped", "frozen")
     n = F.lit(None).cast("int")
     for metric, length in lengths.items():
         n = F.when(F.col("metric") == metric, length).otherwise(n)
     t = transfers.select("stock_id").distinct().withColumn("__t", F.lit(True))
     j = differences.join(i, [*series, date]).join(t, "stock_id", "left").withColumn("__n", n)
-    touches = lambda c: F.col(c).isNotNull() & (F.col("__n").isNull() | (F.col("__i") - F.col(c) < F.col("__n")))
-    kind = F.when(F.col("__t"), "market_transfer").when(touches("__d"), "dropped_no_trade_days").when(F.startswith("metric", F.lit("vma")) & touches("__f"), "frozen_volume").otherwise("unexplained")
-    return j.withColumn("diff_class", kind).withColumn("magnitude", magnitude(F.abs(F.col("ours") - F.col("theirs")))).drop("__i", "__d", "__f", "__n", "__t")
+    touches = lambda c: F.col(c).isNotNull() & (F.col("__n").isNull() | (F.col("__i") - F.col(c) < F.col("__n")))
+    # The classes of differences, in the order they are tried.
+    kind = F.when(F.col("__t"), "market_transfer").when(touches("__d"), "dropped_no_trade_days").when(
+        F.startswith("metric", F.lit("vma")) & touches("__f"), "frozen_volume"
+    ).otherwise("unexplained")
+    return j.withColumn("diff_class", kind).withColumn(
+        "magnitude", magnitude(F.abs(F.col("ours") - F.col("theirs")))
+    ).drop(
+        "__i", "__d", "__f", "__n", "__t"
+    )
 
 
-def rebased_change(ours: DataFrame, theirs: DataFrame, value: str, series: Sequence[str] = SERIES, date: str = "snapshot_date") -> DataFrame:
+def rebased_change(
+    ours: DataFrame, theirs: DataFrame, value: str, series: Sequence[str] = SERIES, date: str = "snapshot_date"
+) -> DataFrame:
     """Our change against the other side's previous snapshot (J11): ours now less ours on their previous date."""
     w = Window.partitionBy(*series).orderBy(date)
-    their = theirs.select(*series, date, F.lag(date).over(w).alias("their_previous"), (F.col(value) - F.lag(value).over(w)).alias("their_change"))
-    mine = ours.select(*series, date, F.col(value).alias("mine"), (F.col(value) - F.lag(value).over(w)).alias("our_change"))
+    their = theirs.select(
+        *series,
+        date,
+        F.lag(date).over(w).alias("their_previous"),
+        (F.col(value) - F.lag(value).over(w)).alias("their_change"),
+    )
+    mine = ours.select(
+        *series, date, F.col(value).alias("mine"), (F.col(value) - F.lag(value).over(w)).alias("our_change")
+    )
     then = ours.select(*series, F.col(date).alias("their_previous"), F.col(value).alias("mine_then"))
     j = mine.join(their, [*series, date]).join(then, [*series, "their_previous"], "left")
-    return j.select(*series, date, "our_change", "their_change", (F.col("mine") - F.col("mine_then")).alias("rebased_change"))
+    return j.select(
+        *series, date, "our_change", "their_change", (F.col("mine") - F.col("mine_then")).alias("rebased_change")
+    )
 
 
-def valuation_classes(ours: DataFrame, theirs: DataFrame, alternative: DataFrame, keys: Sequence[str], column: str = "ttm_eps") -> DataFrame:
-    """Valuation differences (J12): equal, explained by alternative publication dates, a row missing on a side, else unexplained.
+def valuation_classes(
+    ours: DataFrame, theirs: DataFrame, alternative: DataFrame, keys: Sequence[str], column: str = "ttm_eps"
+) -> DataFrame:
+    """Valuation differences (J12): equal, explained by alternative publication dates, a row missing on a side, else
+    unexplained.
 
     ``alternative`` is our computation run again with the other side's publication dates."""
     v = lambda df, n: df.select(*keys, F.col(column).alias(n), F.lit(True).alias(f"__{n}"))
-    j = v(ours, "mine").join(v(theirs, "their_value"), list(keys), "full").join(v(alternative, "alternative"), list(keys), "left")
-    kind = F.when(F.col("__their_value").isNull(), "ours_only").when(F.col("__mine").isNull(), "theirs_only").when(F.col("mine").eqNullSafe(F.col("their_value")), "equal").when(F.col("alternative").eqNullSafe(F.col("their_value")) & F.col("__alternative").isNotNull(), "publication_date").otherwise("unexplained")
+    j = v(ours, "mine").join(v(theirs, "their_value"), list(keys), "full").join(
+        v(alternative, "alternative"), list(keys), "left"
+    )
+    kind = F.when(F.col("__their_value").isNull(), "ours_only").when(F.col("__mine").isNull(), "theirs_only").when(
+        F.col("mine").eqNullSafe(F.col("their_value")), "equal"
+    ).when(
+        F.col("alternative").eqNullSafe(F.col("their_value")) & F.col("__alternative").isNotNull(), "publication_date"
+    ).otherwise("unexplained")
     return j.select(*keys, "mine", "their_value", kind.alias("diff_class"))
 
 
 def session_index(calendar: DataFrame) -> DataFrame:
-    """Trading days numbered from 1 (J13); the difference of two numbers is the sessions between them. A calendar is small."""
-    return calendar.select("trade_date").distinct().withColumn("session", F.row_number().over(Window.partitionBy(F.lit(0)).orderBy("trade_date")))
+    """Trading days numbered from 1 (J13); the difference of two numbers is the sessions between them. A calendar is
+    small."""
+    return calendar.select("trade_date").distinct().withColumn(
+        "session", F.row_number().over(Window.partitionBy(F.lit(0)).orderBy("trade_date"))
+    )
 
 
 def beyond_limit(ratio: Column, sessions: Column, limit: float = 0.1) -> Column:
@@ -157,51 +256,145 @@ def beyond_limit(ratio: Column, sessions: Column, limit: float = 0.1) -> Column:
     return (ratio > F.pow(F.lit(1 + limit), sessions) + 1e-9) | (ratio < F.pow(F.lit(1 - limit), sessions) - 1e-9)
 
 
-def classify_gaps(bars: DataFrame, events: DataFrame, calendar: DataFrame, spans: DataFrame, start: Column, column: str = "close", free_sessions: int = 5) -> DataFrame:
-    """Moves beyond the daily limits and why (J15): (series, previous_date, trade_date, sessions, ratio, reason, detail).
-
-    Traded closes only. Events between the two days (exclusive, inclusive) are found by carrying the last event date forward in
-    the series' window; listings likewise, so no range join is needed. ``events`` has the series and ex_date; ``spans`` stock_id and listed_on.
+def classify_gaps(
+    bars: DataFrame,
+    events: DataFrame,
+    calendar: DataFrame,
+    spans: DataFrame,
+    start: Column,
+    column: str = "close",
+    free_sessions: int = 5,
+) -> DataFrame:
+    """Moves beyond the daily limits and why (J15): (series, previous_date, trade_date, sessions, ratio, reason,
+    detail).
+
+    Traded closes only. Events between the two days (exclusive, inclusive) are found by carrying the last event date
+    forward in the series' window; listings likewise, so no range join is needed. ``events`` has the series and
+    ex_date; ``spans`` stock_id and listed_on.
     """
     s = session_index(calendar)
     w = Window.partitionBy(*SERIES).orderBy("trade_date")
     none = F.lit(None)
-    rows = bars.where(F.col(column).isNotNull()).select(*SERIES, "trade_date", F.col(column).cast("double").alias("c"), F.lit(2).alias("k"), none.cast("date").alias("e"), none.cast("date").alias("l"))
-    ev = events.select(*SERIES, F.col("ex_date").alias("trade_date"), none.cast("double").alias("c"), F.lit(0).alias("k"), F.col("ex_date").alias("e"), none.cast("date").alias("l"))
-    ls = bars.select(*SERIES).distinct().join(spans.where("listed_on is not null").select("stock_id", "listed_on"), "stock_id").select(*SERIES, F.col("listed_on").alias("trade_date"), none.cast("double").alias("c"), F.lit(1).alias("k"), none.cast("date").alias("e"), F.col("listed_on").alias("l"))
+    rows = bars.where(F.col(column).isNotNull()).select(
+        *SERIES,
+        "trade_date",
+        F.col(column).cast("double").alias("c"),
+        F.lit(2).alias("k"),
+        none.cast("date").alias("e"),
+        none.cast("date").alias("l"),
+    )
+    ev = events.select(
+        *SERIES,
+        F.col("ex_date").alias("trade_date"),
+        none.cast("double").alias("c"),
+        F.lit(0).alias("k"),
+        F.col("ex_date").alias("e"),
+        none.cast("date").alias("l"),
+    )
+    ls = bars.select(*SERIES).distinct().join(
+        spans.where("listed_on is not null").select("stock_id", "listed_on"), "stock_id"
+    ).select(
+        *SERIES,
+        F.col("listed_on").alias("trade_date"),
+        none.cast("double").alias("c"),
+        F.lit(1).alias("k"),
+        none.cast("date").alias("e"),
+        F.col("listed_on").alias("l"),
+    )
     o = Window.partitionBy(*SERIES).orderBy("trade_date", "k").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    placed = rows.unionByName(ev).unionByName(ls).select(*SERIES, "trade_date", "c", "k", F.max("e").over(o).alias("event"), F.max("l").over(o).alias("listed")).where("k = 2")
-    pairs = placed.withColumn("previous_date", F.lag("trade_date").over(w)).withColumn("p", F.lag("c").over(w)).withColumn("first", F.min("trade_date").over(Window.partitionBy(*SERIES)))
+    placed = rows.unionByName(ev).unionByName(ls).select(
+        *SERIES, "trade_date", "c", "k", F.max("e").over(o).alias("event"), F.max("l").over(o).alias("listed")
+    ).where("k = 2")
+    pairs = placed.withColumn("previous_date", F.lag("trade_date").over(w)).withColumn(
+        "p", F.lag("c").over(w)
+    ).withColumn(
+        "first", F.min("trade_date").over(Window.partitionBy(*SERIES))
+    )
     n = pairs.where("previous_date is not null and p <> 0")
     for name in ("trade_date", "previous_date", "listed", "first"):
         n = n.join(small(s.select(F.col("trade_date").alias(name), F.col("session").alias(f"s_{name}"))), name, "left")
-    n = n.withColumn("sessions", F.col("s_trade_date") - F.col("s_previous_date")).withColumn("ratio", F.col("c") / F.col("p")).where(beyond_limit(F.col("ratio"), F.col("sessions")))
+    n = n.withColumn("sessions", F.col("s_trade_date") - F.col("s_previous_date")).withColumn(
+        "ratio", F.col("c") / F.col("p")
+    ).where(
+        beyond_limit(F.col("ratio"), F.col("sessions"))
+    )
     since = lambda c: F.col("s_trade_date") - F.col(c) + 1 <= free_sessions
     event = F.coalesce(F.col("event") > F.col("previous_date"), F.lit(False))
-    detail = F.when(F.coalesce(since("s_listed"), F.lit(False)), "new_listing").when((F.col("first") > start) & since("s_first") & ~F.coalesce(F.col("listed") >= F.col("first"), F.lit(False)), "series_start")
-    reason = F.when(detail.isNotNull(), "explained_by_other_documented_market_event").when(event, "explained_by_corporate_action").otherwise("unexplained_anomaly")
-    return n.select(*SERIES, "previous_date", "trade_date", "sessions", "ratio", reason.alias("reason"), F.coalesce(detail, F.when(event, "corporate_action")).alias("detail"))
+    detail = F.when(F.coalesce(since("s_listed"), F.lit(False)), "new_listing").when(
+        (F.col("first") > start) & since("s_first") & ~F.coalesce(F.col("listed") >= F.col("first"), F.lit(False)),
+        "series_start",
+    )
+    # The reasons of gaps, in the order they are tried.
+    reason = F.when(
+        detail.isNotNull(), "explained_by_other_documented_market_event"
+    ).when(event, "explained_by_corporate_action").otherwise("unexplained_anomaly")
+    return n.select(
+        *SERIES,
+        "previous_date",
+        "trade_date",
+        "sessions",
+        "ratio",
+        reason.alias("reason"),
+        F.coalesce(detail, F.when(event, "corporate_action")).alias("detail"),
+    )
 
 
 def event_continuity(events: DataFrame, bars: DataFrame) -> DataFrame:
-    """Whether each event's close_before is the last traded close before its ex-date (J16); as-of by carrying the close forward."""
+    """Whether each event's close_before is the last traded close before its ex-date (J16); as-of by carrying the
+    close forward."""
     none = F.lit(None)
-    rows = bars.select(*SERIES, F.col("trade_date").alias("d"), F.col("close").cast("double").alias("c"), F.lit(1).alias("k"), none.cast("double").alias("close_before"))
-    marks = events.select(*SERIES, F.col("ex_date").alias("d"), none.cast("double").alias("c"), F.lit(0).alias("k"), F.col("close_before").cast("double").alias("close_before"))
+    rows = bars.select(
+        *SERIES,
+        F.col("trade_date").alias("d"),
+        F.col("close").cast("double").alias("c"),
+        F.lit(1).alias("k"),
+        none.cast("double").alias("close_before"),
+    )
+    marks = events.select(
+        *SERIES,
+        F.col("ex_date").alias("d"),
+        none.cast("double").alias("c"),
+        F.lit(0).alias("k"),
+        F.col("close_before").cast("double").alias("close_before"),
+    )
     w = Window.partitionBy(*SERIES).orderBy("d", "k").rowsBetween(Window.unboundedPreceding, -1)
     placed = rows.unionByName(marks).withColumn("previous_close", F.last("c", True).over(w)).where("k = 0")
-    return placed.select(*SERIES, F.col("d").alias("ex_date"), "close_before", "previous_close", F.col("close_before").eqNullSafe(F.col("previous_close")).alias("continuous"))
+    return placed.select(
+        *SERIES,
+        F.col("d").alias("ex_date"),
+        "close_before",
+        "previous_close",
+        F.col("close_before").eqNullSafe(F.col("previous_close")).alias("continuous"),
+    )
 
 
 def table_differences(a: DataFrame, b: DataFrame) -> DataFrame:
     """Rows that only one of two tables holds, with repeats."""
     cols = a.columns
-    return a.exceptAll(b.select(*cols)).withColumn("side", F.lit("first")).unionByName(b.select(*cols).exceptAll(a).withColumn("side", F.lit("second")))
+    return a.exceptAll(b.select(*cols)).withColumn("side", F.lit("first")).unionByName(
+        b.select(*cols).exceptAll(a).withColumn("side", F.lit("second"))
+    )
 
 
 def version_changes(rows: DataFrame, keys: Sequence[str], values: Sequence[str]) -> DataFrame:
-    """Each appended version beside its predecessor, changed columns only (J18): ``changes`` maps a column to "old -> new"."""
+    """Each appended version beside its predecessor, changed columns only (J18): ``changes`` maps a column to "old ->
+    new"."""
     w = Window.partitionBy(*keys).orderBy("recorded_at")
     old = rows.withColumn("__old", F.lag(F.struct(*values)).over(w)).where("__old is not null")
-    cells = F.map_from_arrays(F.array(*[F.lit(v) for v in values]), F.array(*[F.when(~F.col(v).eqNullSafe(F.col(f"__old.{v}")), F.concat(F.coalesce(F.col(f"__old.{v}").cast("string"), F.lit("null")), F.lit(" -> "), F.coalesce(F.col(v).cast("string"), F.lit("null")))) for v in values]))
+    cells = F.map_from_arrays(
+        F.array(*[F.lit(v) for v in values]),
+        F.array(
+            *[
+                F.when(
+                    ~F.col(v).eqNullSafe(F.col(f"__old.{v}")),
+                    F.concat(
+                        F.coalesce(F.col(f"__old.{v}").cast("string"), F.lit("null")),
+                        F.lit(" -> "),
+                        F.coalesce(F.col(v).cast("string"), F.lit("null")),
+                    ),
+                )
+                for v in values
+            ]
+        ),
+    )
     return old.select(*keys, "recorded_at", F.map_filter(cells, lambda _, x: x.isNotNull()).alias("changes"))

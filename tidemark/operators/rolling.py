@@ -56,7 +56,9 @@ class Scan:
         self.recorded = np.full(n, np.iinfo(np.int64).min)
         self.rsv, self.k = np.full(n, NEUTRAL_RSV), np.full(n, np.nan)
         mean = lambda alpha, adjust=False, least=1: RunningMean(n, alpha, adjust, least)
-        self.means = {"k": mean(1 / 3), "d": mean(1 / 3), "fast": mean(2 / 13), "slow": mean(2 / 27), "dea": mean(2 / 10)}
+        self.means = {
+            "k": mean(1 / 3), "d": mean(1 / 3), "fast": mean(2 / 13), "slow": mean(2 / 27), "dea": mean(2 / 10)
+        }
         self.rsi = {p: (mean(1 / p, True, p), mean(1 / p, True, p)) for p in (6, 12)}
         self.sums = {c: np.zeros(n + 1, np.int64) for c in ("close", "volume")}
         self.counts = {c: np.zeros(n + 1, np.int64) for c in ("close", "volume")}
@@ -117,8 +119,16 @@ class Scan:
         return [out[m] for m in METRICS]
 
 
-def scan_series(dates: np.ndarray, cutoffs: np.ndarray, place: np.ndarray, available: np.ndarray, recorded: np.ndarray, values: np.ndarray) -> np.ndarray:
-    """The panel rows of a series: ``dates`` with their ``cutoffs``, and versions with their date's place, instants and values."""
+def scan_series(
+    dates: np.ndarray,
+    cutoffs: np.ndarray,
+    place: np.ndarray,
+    available: np.ndarray,
+    recorded: np.ndarray,
+    values: np.ndarray,
+) -> np.ndarray:
+    """The panel rows of a series: ``dates`` with their ``cutoffs``, and versions with their date's place, instants
+    and values."""
     order = np.lexsort((recorded, available))
     scan, out, at = Scan(len(dates)), np.empty((len(dates), len(METRICS))), 0
     for i, cutoff in enumerate(cutoffs):
@@ -141,11 +151,15 @@ def rolling_panel(
     ``available`` has the series, the date, recorded_at, available_at, high, low, close and volume. One task scans
     a series; only what it needs is shuffled.
     """
-    micros = lambda c: F.unix_micros(F.col(c).cast("timestamp_ntz").cast("timestamp")) if isinstance(c, str) else c
+    micros = lambda c: F.unix_micros(F.col(c).cast("timestamp_ntz").cast("timestamp")) if isinstance(c, str) else c
     bars = [F.col(c).cast("double").alias(c) for c in ("high", "low", "close", "volume")]
     own = F.unix_micros(rule(F.col(date)).cast("timestamp")).alias("__cutoff")
-    rows = available.select(*series, date, micros("recorded_at").alias("__r"), micros("available_at").alias("__a"), own, *bars)
-    schema = T.StructType([rows.schema[c] for c in (*series, date)] + [T.StructField(m, T.DoubleType()) for m in METRICS])
+    rows = available.select(
+        *series, date, micros("recorded_at").alias("__r"), micros("available_at").alias("__a"), own, *bars
+    )
+    schema = T.StructType(
+        [rows.schema[c] for c in (*series, date)] + [T.StructField(m, T.DoubleType()) for m in METRICS]
+    )
 
     def along(group: pd.DataFrame) -> pd.DataFrame:
         days, first, place = np.unique(group[date].to_numpy(), return_index=True, return_inverse=True)

@@ -14,11 +14,13 @@ KEY = ("stock_id", "market")
 
 
 def pair_events(listed: DataFrame, delisted: DataFrame) -> DataFrame:
-    """Episodes (H1): (stock_id, market, episode, listed_on, delisted_on, problem, note, listed_fetch_id, delisted_fetch_id).
+    """Episodes (H1): (stock_id, market, episode, listed_on, delisted_on, problem, note, listed_fetch_id,
+    delisted_fetch_id).
 
-    The running count of earlier delistings numbers the episodes, so that each delisting meets the last listing since the
-    previous one; a listing on the day of a delisting belongs to the next episode. Several listings in an episode:
-    ``listed_twice``; a later delisting without one: ``delisted_twice``. The last episode has no delisting while a listing is open.
+    The running count of earlier delistings numbers the episodes, so that each delisting meets the last listing since
+    the previous one; a listing on the day of a delisting belongs to the next episode. Several listings in an episode:
+    ``listed_twice``; a later delisting without one: ``delisted_twice``. The last episode has no delisting while a
+    listing is open.
     """
     cols = ["stock_id", "market", "on_date", "name", "note", "fetch_id"]
     both = listed.select(*cols, F.lit(1).alias("kind")).unionByName(delisted.select(*cols, F.lit(0).alias("kind")))
@@ -26,59 +28,128 @@ def pair_events(listed: DataFrame, delisted: DataFrame) -> DataFrame:
     numbered = both.withColumn("episode", F.coalesce(F.sum(1 - F.col("kind")).over(w), F.lit(0)))
     up = F.when(F.col("kind") == 1, F.struct("on_date", "fetch_id", "note", "name"))
     down = F.when(F.col("kind") == 0, F.struct("on_date", "fetch_id", "name"))
-    out = numbered.groupBy(*KEY, "episode").agg(F.max(up).alias("u"), F.max(down).alias("d"), F.count_if(F.col("kind") == 1).alias("n"))
+    out = numbered.groupBy(*KEY, "episode").agg(
+        F.max(up).alias("u"), F.max(down).alias("d"), F.count_if(F.col("kind") == 1).alias("n")
+    )
     problem = F.when(F.col("n") > 1, "listed_twice").when((F.col("n") == 0) & (F.col("episode") > 0), "delisted_twice")
-    return out.select(*KEY, "episode", F.col("u.on_date").alias("listed_on"), F.col("d.on_date").alias("delisted_on"), problem.alias("problem"), F.col("u.note").alias("note"), F.col("u.fetch_id").alias("listed_fetch_id"), F.col("d.fetch_id").alias("delisted_fetch_id"))
+    return out.select(
+        *KEY,
+        "episode",
+        F.col("u.on_date").alias("listed_on"),
+        F.col("d.on_date").alias("delisted_on"),
+        problem.alias("problem"),
+        F.col("u.note").alias("note"),
+        F.col("u.fetch_id").alias("listed_fetch_id"),
+        F.col("d.fetch_id").alias("delisted_fetch_id"),
+    )
 
 
 def needs_lookup(pairs: DataFrame, window_start: Column) -> DataFrame:
     """Stocks delisted inside the window whose listing the tables don't show (H2)."""
-    return pairs.where((F.col("delisted_on") >= window_start) & F.col("listed_on").isNull()).select("stock_id").distinct()
-
-
-def assemble(today: DataFrame, listed: DataFrame, delisted: DataFrame, lookups: DataFrame, window_start: Column, in_scope: Sequence[str], innovation: str = "innovation") -> DataFrame:
+    return pairs.where(
+        (F.col("delisted_on") >= window_start) & F.col("listed_on").isNull()
+    ).select("stock_id").distinct()
+
+
+def assemble(
+    today: DataFrame,
+    listed: DataFrame,
+    delisted: DataFrame,
+    lookups: DataFrame,
+    window_start: Column,
+    in_scope: Sequence[str],
+    innovation: str = "innovation",
+) -> DataFrame:
     """Decision per episode (H3, H4): (stock_id, market, decision, reason, listed_on, delisted_on, by_lookup).
 
-    ``decision``: span, excluded, quarantined, warning or before_window. ``today`` has (stock_id, market, name, industry,
-    listed_on), ``lookups`` (stock_id, name, industry, category, registered_on). A stock on today's list without an open
-    episode gets a span of its own; its start is the list's date only where delistings or an ambiguous opening deny "before the
-    tables begin" and the date is not before the last delisting.
+    ``decision``: span, excluded, quarantined, warning or before_window. ``today`` has (stock_id, market, name,
+    industry, listed_on), ``lookups`` (stock_id, name, industry, category, registered_on). A stock on today's list
+    without an open episode gets a span of its own; its start is the list's date only where delistings or an ambiguous
+    opening deny "before the tables begin" and the date is not before the last delisting.
     """
     pairs = pair_events(listed, delisted)
     now = today.select(*KEY, F.col("listed_on").alias("isin_on"), F.lit(True).alias("on_list"))
     look = lookups.select("stock_id", "registered_on", "category", F.lit(True).alias("found"))
-    j = pairs.join(now, list(KEY), "left").join(look, "stock_id", "left").withColumn("on_list", F.coalesce("on_list", F.lit(False)))
+    j = pairs.join(now, list(KEY), "left").join(look, "stock_id", "left").withColumn(
+        "on_list", F.coalesce("on_list", F.lit(False))
+    )
     opened, gone = F.col("listed_on").isNotNull(), F.col("delisted_on").isNotNull()
     board = opened & F.coalesce(F.contains(F.col("note"), F.lit(innovation)), F.lit(False))
     seen = F.coalesce("found", F.lit(False))
     alien = F.col("registered_on").isNull() | (F.col("registered_on") > F.col("delisted_on"))
     verdict = (
-        F.when(gone & (F.col("delisted_on") < window_start), F.struct(F.lit("before_window").alias("d"), F.lit(None).cast("string").alias("r")))
-        .when(F.col("problem").isNotNull(), F.struct(F.lit("quarantined").alias("d"), F.col("problem").alias("r")))
-        .when(~gone & F.col("on_list"), F.struct(F.lit("span").alias("d"), F.lit(None).cast("string").alias("r")))
-        .when(board, F.struct(F.lit("excluded").alias("d"), F.lit("innovation_board").alias("r")))
-        .when(~gone, F.struct(F.lit("quarantined").alias("d"), F.lit("listed_not_on_isin").alias("r")))
-        .when(opened, F.struct(F.lit("span").alias("d"), F.lit(None).cast("string").alias("r")))
-        .when(~seen, F.struct(F.lit("quarantined").alias("d"), F.lit("unproven_category").alias("r")))
-        .when(alien, F.struct(F.lit("quarantined").alias("d"), F.lit("isin_lookup_is_another_security").alias("r")))
-        .when(~F.col("category").isin(list(in_scope)), F.struct(F.lit("excluded").alias("d"), F.concat(F.lit("category:"), F.col("category")).alias("r")))
-        .otherwise(F.struct(F.lit("span").alias("d"), F.lit(None).cast("string").alias("r")))
+        F.when(
+            gone & (F.col("delisted_on") < window_start),
+            F.struct(F.lit("before_window").alias("d"), F.lit(None).cast("string").alias("r")),
+        ).when(
+            F.col("problem").isNotNull(), F.struct(F.lit("quarantined").alias("d"), F.col("problem").alias("r"))
+        ).when(
+            ~gone & F.col("on_list"), F.struct(F.lit("span").alias("d"), F.lit(None).cast("string").alias("r"))
+        ).when(
+            board, F.struct(F.lit("excluded").alias("d"), F.lit("innovation_board").alias("r"))
+        ).when(
+            ~gone, F.struct(F.lit("quarantined").alias("d"), F.lit("listed_not_on_isin").alias("r"))
+        ).when(
+            opened, F.struct(F.lit("span").alias("d"), F.lit(None).cast("string").alias("r"))
+        ).when(
+            ~seen, F.struct(F.lit("quarantined").alias("d"), F.lit("unproven_category").alias("r"))
+        ).when(
+            alien, F.struct(F.lit("quarantined").alias("d"), F.lit("isin_lookup_is_another_security").alias("r"))
+        ).when(
+            ~F.col("category").isin(list(in_scope)),
+            F.struct(F.lit("excluded").alias("d"), F.concat(F.lit("category:"), F.col("category")).alias("r")),
+        ).otherwise(
+            F.struct(F.lit("span").alias("d"), F.lit(None).cast("string").alias("r"))
+        )
     )
     start = F.when(~gone & board, F.col("isin_on")).otherwise(F.col("listed_on"))
-    judged = j.withColumn("v", verdict).select(*KEY, F.col("v.d").alias("decision"), F.col("v.r").alias("reason"), start.alias("listed_on"), "delisted_on", (gone & ~opened & (F.col("v.d") == "span")).alias("by_lookup"), (~gone & F.col("problem").isNotNull()).alias("ambiguous"))
-    state = judged.groupBy(*KEY).agg(F.bool_or((F.col("decision") == "span") & F.col("delisted_on").isNull()).alias("open"), F.max("delisted_on").alias("last_left"), F.bool_or("ambiguous").alias("ambiguous"))
+    judged = j.withColumn("v", verdict).select(
+        *KEY,
+        F.col("v.d").alias("decision"),
+        F.col("v.r").alias("reason"),
+        start.alias("listed_on"),
+        "delisted_on",
+        (gone & ~opened & (F.col("v.d") == "span")).alias("by_lookup"),
+        (~gone & F.col("problem").isNotNull()).alias("ambiguous"),
+    )
+    state = judged.groupBy(*KEY).agg(
+        F.bool_or((F.col("decision") == "span") & F.col("delisted_on").isNull()).alias("open"),
+        F.max("delisted_on").alias("last_left"),
+        F.bool_or("ambiguous").alias("ambiguous"),
+    )
     left = now.join(state, list(KEY), "left").where(~F.coalesce("open", F.lit(False)))
-    dated = (F.col("last_left").isNotNull() | F.coalesce("ambiguous", F.lit(False))) & (F.col("last_left").isNull() | (F.col("isin_on") >= F.col("last_left")))
+    dated = (F.col("last_left").isNotNull() | F.coalesce("ambiguous", F.lit(False))) & (
+        F.col("last_left").isNull() | (F.col("isin_on") >= F.col("last_left"))
+    )
     none = F.lit(None)
-    own = left.select(*KEY, F.lit("span").alias("decision"), none.cast("string").alias("reason"), F.when(dated, F.col("isin_on")).alias("listed_on"), none.cast("date").alias("delisted_on"), F.lit(False).alias("by_lookup"))
-    warn = left.where("last_left is not null").select(*KEY, F.lit("warning").alias("decision"), F.lit("relisted_without_listing_row").alias("reason"), none.cast("date").alias("listed_on"), none.cast("date").alias("delisted_on"), F.lit(False).alias("by_lookup"))
+    own = left.select(
+        *KEY,
+        F.lit("span").alias("decision"),
+        none.cast("string").alias("reason"),
+        F.when(dated, F.col("isin_on")).alias("listed_on"),
+        none.cast("date").alias("delisted_on"),
+        F.lit(False).alias("by_lookup"),
+    )
+    warn = left.where("last_left is not null").select(
+        *KEY,
+        F.lit("warning").alias("decision"),
+        F.lit("relisted_without_listing_row").alias("reason"),
+        none.cast("date").alias("listed_on"),
+        none.cast("date").alias("delisted_on"),
+        F.lit(False).alias("by_lookup"),
+    )
     return judged.drop("ambiguous").unionByName(own).unionByName(warn)
 
 
-def company_identity(decisions: DataFrame, today: DataFrame, lookups: DataFrame, listed: DataFrame, delisted: DataFrame) -> DataFrame:
-    """(stock_id, name, industry) of every stock with a span (H5): today's, else the lookup's where it proved the span, else the last event's name."""
+def company_identity(
+    decisions: DataFrame, today: DataFrame, lookups: DataFrame, listed: DataFrame, delisted: DataFrame
+) -> DataFrame:
+    """(stock_id, name, industry) of every stock with a span (H5): today's, else the lookup's where it proved the
+    span, else the last event's name."""
     kept = decisions.where("decision = 'span'").groupBy("stock_id").agg(F.bool_or("by_lookup").alias("by_lookup"))
-    events = listed.select("stock_id", "market", "on_date", "name").unionByName(delisted.select("stock_id", "market", "on_date", "name"))
+    events = listed.select("stock_id", "market", "on_date", "name").unionByName(
+        delisted.select("stock_id", "market", "on_date", "name")
+    )
     last = events.groupBy("stock_id").agg(F.max_by("name", F.struct("on_date", "market", "name")).alias("event_name"))
     t = today.groupBy("stock_id").agg(F.max_by(F.struct("name", "industry"), "market").alias("t"))
     k = lookups.groupBy("stock_id").agg(F.first(F.struct("name", "industry")).alias("k"))
@@ -102,8 +173,16 @@ def members(spans: DataFrame, day: Column) -> DataFrame:
 def stock_records(stocks: DataFrame, spans: DataFrame) -> DataFrame:
     """Each stock with its spans in order, open starts first, and the market of its open span (H7)."""
     s = F.struct(F.col("listed_on").isNotNull().alias("o"), "listed_on", "delisted_on", "market")
-    nested = spans.groupBy("stock_id").agg(F.array_sort(F.collect_list(s)).alias("s"), F.max(F.when(F.col("delisted_on").isNull(), F.col("market"))).alias("current_market"))
-    shaped = F.transform("s", lambda x: F.struct(x["market"].alias("market"), x["listed_on"].alias("listed_on"), x["delisted_on"].alias("delisted_on")))
+    nested = spans.groupBy("stock_id").agg(
+        F.array_sort(F.collect_list(s)).alias("s"),
+        F.max(F.when(F.col("delisted_on").isNull(), F.col("market"))).alias("current_market"),
+    )
+    shaped = F.transform(
+        "s",
+        lambda x: F.struct(
+            x["market"].alias("market"), x["listed_on"].alias("listed_on"), x["delisted_on"].alias("delisted_on")
+        ),
+    )
     return stocks.join(nested, "stock_id", "left").withColumn("spans", shaped).drop("s")
 
 
@@ -113,41 +192,90 @@ def change_versions(changes: DataFrame) -> DataFrame:
 
 
 def anchors(spans: DataFrame, today: DataFrame, quotes: DataFrame, known: Column) -> DataFrame:
-    """(span columns, anchor_code, anchor_on) (H9): an open span's category of today's list; an ended span's last quote inside it known by the cutoff."""
-    q = quotes.where(F.col("recorded_at") <= known).select(F.col("stock_id").alias("__s"), "trade_date", "industry_code", "recorded_at")
+    """(span columns, anchor_code, anchor_on) (H9): an open span's category of today's list; an ended span's last
+    quote inside it known by the cutoff."""
+    q = quotes.where(F.col("recorded_at") <= known).select(
+        F.col("stock_id").alias("__s"), "trade_date", "industry_code", "recorded_at"
+    )
     inside = (spans.stock_id == F.col("__s")) & contains(F.col("trade_date")) & spans.delisted_on.isNotNull()
-    last = spans.join(q, inside).groupBy(*spans.columns).agg(F.max_by(F.struct("industry_code", "trade_date"), F.struct("trade_date", "recorded_at")).alias("a"))
-    ended = last.select(*spans.columns, F.col("a.industry_code").alias("anchor_code"), F.col("a.trade_date").alias("anchor_on"))
+    last = spans.join(q, inside).groupBy(*spans.columns).agg(
+        F.max_by(F.struct("industry_code", "trade_date"), F.struct("trade_date", "recorded_at")).alias("a")
+    )
+    ended = last.select(
+        *spans.columns, F.col("a.industry_code").alias("anchor_code"), F.col("a.trade_date").alias("anchor_on")
+    )
     t = today.select("stock_id", F.col("industry_code").alias("anchor_code"))
-    open_ = spans.where("delisted_on is null").join(t, "stock_id").select(*spans.columns, "anchor_code", F.lit(None).cast("date").alias("anchor_on"))
+    open_ = spans.where("delisted_on is null").join(t, "stock_id").select(
+        *spans.columns, "anchor_code", F.lit(None).cast("date").alias("anchor_on")
+    )
     return ended.unionByName(open_)
 
 
-def category_periods(spans: DataFrame, versions: DataFrame, anchored: DataFrame, categories: DataFrame, information_as_of: Column, known: Column, categories_public: Column) -> DataFrame:
-    """Periods of each span as an instant sees them (H10, H11): (stock_id, market, industry_code, basis, effective_from, effective_to, available_at).
-
-    Per span and effective date the latest public version recorded by ``known`` counts. The first change's old category fills
-    the span before it; without recorded changes the anchor fills it all. Periods are clipped to the existence of their category
-    (code, market, valid_from, valid_to), split at its rename (``renamed_on``, may be null), and shown once available; an end is
-    shown once public: a delisting from its day, a change or a category's end once known.
+def category_periods(
+    spans: DataFrame,
+    versions: DataFrame,
+    anchored: DataFrame,
+    categories: DataFrame,
+    information_as_of: Column,
+    known: Column,
+    categories_public: Column,
+) -> DataFrame:
+    """Periods of each span as an instant sees them (H10, H11): (stock_id, market, industry_code, basis,
+    effective_from, effective_to, available_at).
+
+    Per span and effective date the latest public version recorded by ``known`` counts. The first change's old
+    category fills the span before it; without recorded changes the anchor fills it all. Periods are clipped to the
+    existence of their category (code, market, valid_from, valid_to), split at its rename (``renamed_on``, may be
+    null), and shown once available; an end is shown once public: a delisting from its day, a change or a category's
+    end once known.
     """
     span_key = ["stock_id", "market", "start", "end"]
     s = spans.select("stock_id", "market", F.col("listed_on").alias("start"), F.col("delisted_on").alias("end"))
-    v = versions.where(F.col("recorded_at") <= known).select("stock_id", "effective_date", "old_industry", "new_industry", "recorded_at", "available_at")
-    inside = (F.col("start").isNull() | (F.col("effective_date") >= F.col("start"))) & (F.col("end").isNull() | (F.col("effective_date") < F.col("end")))
+    v = versions.where(F.col("recorded_at") <= known).select(
+        "stock_id", "effective_date", "old_industry", "new_industry", "recorded_at", "available_at"
+    )
+    inside = (F.col("start").isNull() | (F.col("effective_date") >= F.col("start"))) & (
+        F.col("end").isNull() | (F.col("effective_date") < F.col("end"))
+    )
     j = s.join(v, "stock_id").where(inside)
     public = F.col("available_at") <= information_as_of
     row = F.struct("old_industry", "new_industry", "available_at")
-    day = j.groupBy(*span_key, "effective_date").agg(F.max_by(F.when(public, row), F.when(public, F.col("recorded_at"))).alias("p"), F.min_by(row, "recorded_at").alias("first"))
+    day = j.groupBy(*span_key, "effective_date").agg(
+        F.max_by(F.when(public, row), F.when(public, F.col("recorded_at"))).alias("p"),
+        F.min_by(row, "recorded_at").alias("first"),
+    )
     w = Window.partitionBy(*span_key).orderBy("effective_date")
     ranked = day.withColumn("n", F.row_number().over(w))
     midnight = lambda d: F.coalesce(local_instant(d), F.lit("1900-01-01").cast("timestamp_ntz"))
-    before = ranked.where("n = 1").select(*span_key, F.lit(0).alias("n"), F.col("start").alias("since"), F.coalesce("p.old_industry", "first.old_industry").alias("code"), F.lit("before_change").alias("basis"), midnight(F.col("start")).alias("available_at"))
-    change = ranked.where("p is not null").select(*span_key, "n", F.col("effective_date").alias("since"), F.col("p.new_industry").alias("code"), F.lit("change").alias("basis"), F.col("p.available_at").alias("available_at"))
-    a = anchored.select("stock_id", "market", F.col("listed_on").alias("start"), F.col("delisted_on").alias("end"), "anchor_code")
+    before = ranked.where("n = 1").select(
+        *span_key,
+        F.lit(0).alias("n"),
+        F.col("start").alias("since"),
+        F.coalesce("p.old_industry", "first.old_industry").alias("code"),
+        F.lit("before_change").alias("basis"),
+        midnight(F.col("start")).alias("available_at"),
+    )
+    change = ranked.where("p is not null").select(
+        *span_key,
+        "n",
+        F.col("effective_date").alias("since"),
+        F.col("p.new_industry").alias("code"),
+        F.lit("change").alias("basis"),
+        F.col("p.available_at").alias("available_at"),
+    )
+    a = anchored.select(
+        "stock_id", "market", F.col("listed_on").alias("start"), F.col("delisted_on").alias("end"), "anchor_code"
+    )
     same = [F.col(f"x_{c}").eqNullSafe(F.col(c)) for c in span_key]
     has = day.select(*[F.col(c).alias(f"x_{c}") for c in span_key]).distinct()
-    anchor = a.join(has, same, "left_anti").select(*span_key, F.lit(0).alias("n"), F.col("start").alias("since"), F.col("anchor_code").alias("code"), F.lit("anchor").alias("basis"), midnight(F.col("start")).alias("available_at"))
+    anchor = a.join(has, same, "left_anti").select(
+        *span_key,
+        F.lit(0).alias("n"),
+        F.col("start").alias("since"),
+        F.col("anchor_code").alias("code"),
+        F.lit("anchor").alias("basis"),
+        midnight(F.col("start")).alias("available_at"),
+    )
     o = Window.partitionBy(*span_key).orderBy("n")
     drafts = before.unionByName(change).unionByName(anchor).withColumn("next", F.lead("since").over(o))
     c = categories.select(F.col("code"), "market", "valid_from", "valid_to", "renamed_on")
@@ -156,76 +284,161 @@ def category_periods(spans: DataFrame, versions: DataFrame, anchored: DataFrame,
     end_public = F.when(F.col("next").isNull() & F.col("end").isNotNull(), local_instant(F.col("end")))
     late_from = F.col("valid_from").isNotNull() & (F.col("since").isNull() | (F.col("since") < F.col("valid_from")))
     early_end = F.col("valid_to").isNotNull() & (until.isNull() | (F.col("valid_to") < until))
-    d = d.select(*span_key, "n", "code", "basis", "renamed_on", F.when(late_from, F.col("valid_from")).otherwise(F.col("since")).alias("since"), F.when(late_from, F.greatest("available_at", local_instant(F.col("valid_from")))).otherwise(F.col("available_at")).alias("available_at"), F.when(early_end, F.col("valid_to")).otherwise(until).alias("until"), F.when(early_end, categories_public).otherwise(end_public).alias("end_public"))
+    d = d.select(
+        *span_key,
+        "n",
+        "code",
+        "basis",
+        "renamed_on",
+        F.when(late_from, F.col("valid_from")).otherwise(F.col("since")).alias("since"),
+        F.when(
+            late_from, F.greatest("available_at", local_instant(F.col("valid_from")))
+        ).otherwise(F.col("available_at")).alias("available_at"),
+        F.when(early_end, F.col("valid_to")).otherwise(until).alias("until"),
+        F.when(early_end, categories_public).otherwise(end_public).alias("end_public"),
+    )
     d = d.where(F.col("until").isNull() | F.col("since").isNull() | (F.col("since") < F.col("until")))
-    cut = F.col("renamed_on").isNotNull() & (F.col("since").isNull() | (F.col("since") < F.col("renamed_on"))) & (F.col("until").isNull() | (F.col("renamed_on") < F.col("until")))
+    cut = F.col("renamed_on").isNotNull() & (F.col("since").isNull() | (F.col("since") < F.col("renamed_on"))) & (
+        F.col("until").isNull() | (F.col("renamed_on") < F.col("until"))
+    )
     whole = F.struct("since", "until", "basis", "available_at", "end_public")
-    first = F.struct("since", F.col("renamed_on").alias("until"), "basis", "available_at", categories_public.alias("end_public"))
-    second = F.struct(F.col("renamed_on").alias("since"), "until", F.lit("rename").alias("basis"), F.greatest("available_at", categories_public).alias("available_at"), "end_public")
-    pieces = d.select(*span_key, "n", "code", F.explode(F.when(cut, F.array(first, second)).otherwise(F.array(whole))).alias("x")).select(*span_key, "n", "code", "x.*")
+    first = F.struct(
+        "since", F.col("renamed_on").alias("until"), "basis", "available_at", categories_public.alias("end_public")
+    )
+    second = F.struct(
+        F.col("renamed_on").alias("since"),
+        "until",
+        F.lit("rename").alias("basis"),
+        F.greatest("available_at", categories_public).alias("available_at"),
+        "end_public",
+    )
+    pieces = d.select(
+        *span_key, "n", "code", F.explode(F.when(cut, F.array(first, second)).otherwise(F.array(whole))).alias("x")
+    ).select(*span_key, "n", "code", "x.*")
     seen = pieces.where(F.col("available_at") <= information_as_of)
     p = Window.partitionBy(*span_key).orderBy(F.col("n"), F.col("since").asc_nulls_first())
     nxt = F.lead("since").over(p)
     ceased = F.col("until").isNotNull() & F.coalesce(F.col("end_public") <= information_as_of, F.lit(False))
-    shown = F.when(nxt.isNotNull(), F.when(ceased & (F.col("until") < nxt), F.col("until")).otherwise(nxt)).when(ceased, F.col("until"))
-    return seen.select("stock_id", "market", F.col("code").alias("industry_code"), "basis", F.col("since").alias("effective_from"), shown.alias("effective_to"), "available_at")
+    shown = F.when(
+        nxt.isNotNull(), F.when(ceased & (F.col("until") < nxt), F.col("until")).otherwise(nxt)
+    ).when(ceased, F.col("until"))
+    return seen.select(
+        "stock_id",
+        "market",
+        F.col("code").alias("industry_code"),
+        "basis",
+        F.col("since").alias("effective_from"),
+        shown.alias("effective_to"),
+        "available_at",
+    )
 
 
-def overlapping(periods: DataFrame, start: Column, end: Column, since: str = "effective_from", until: str = "effective_to") -> DataFrame:
+def overlapping(
+    periods: DataFrame, start: Column, end: Column, since: str = "effective_from", until: str = "effective_to"
+) -> DataFrame:
     """Periods that overlap [start, end] (H12); equal bounds ask for containment of a day."""
-    return periods.where((F.col(since).isNull() | (F.col(since) <= end)) & (F.col(until).isNull() | (F.col(until) > start)))
+    return periods.where(
+        (F.col(since).isNull() | (F.col(since) <= end)) & (F.col(until).isNull() | (F.col(until) > start))
+    )
 
 
 def last_known_category(periods: DataFrame) -> DataFrame:
     """For stocks without a current period, the last known category."""
-    stats = periods.groupBy("stock_id").agg(F.bool_or(F.col("effective_to").isNull()).alias("current"), F.max_by("industry_code", F.struct(F.col("effective_from").isNotNull(), "effective_from")).alias("industry_code"))
+    stats = periods.groupBy("stock_id").agg(
+        F.bool_or(F.col("effective_to").isNull()).alias("current"),
+        F.max_by(
+            "industry_code", F.struct(F.col("effective_from").isNotNull(), "effective_from")
+        ).alias("industry_code"),
+    )
     return stats.where(~F.col("current")).drop("current")
 
 
 def chain_issues(spans: DataFrame, versions: DataFrame, anchored: DataFrame) -> DataFrame:
-    """(stock_id, effective_date, issue) (H14): changes outside every span, broken links, anchors that disagree with the last change."""
-    latest = versions.groupBy("stock_id", "effective_date").agg(F.max_by(F.struct("old_industry", "new_industry"), "recorded_at").alias("v")).select("stock_id", "effective_date", "v.*")
+    """(stock_id, effective_date, issue) (H14): changes outside every span, broken links, anchors that disagree with
+    the last change."""
+    latest = versions.groupBy("stock_id", "effective_date").agg(
+        F.max_by(F.struct("old_industry", "new_industry"), "recorded_at").alias("v")
+    ).select("stock_id", "effective_date", "v.*")
     s = spans.select("stock_id", "listed_on", "delisted_on", "market")
-    outside = latest.join(s, (latest.stock_id == s.stock_id) & contains(latest.effective_date), "left_anti").select("stock_id", "effective_date", F.lit("outside_span").alias("issue"))
+    outside = latest.join(s, (latest.stock_id == s.stock_id) & contains(latest.effective_date), "left_anti").select(
+        "stock_id", "effective_date", F.lit("outside_span").alias("issue")
+    )
     w = Window.partitionBy("stock_id").orderBy("effective_date")
-    links = latest.withColumn("__left", F.lag("new_industry").over(w)).where("__left <> old_industry").select("stock_id", "effective_date", F.lit("broken_link").alias("issue"))
-    last = latest.groupBy("stock_id").agg(F.max_by("new_industry", "effective_date").alias("said"), F.max("effective_date").alias("effective_date"))
+    links = latest.withColumn("__left", F.lag("new_industry").over(w)).where("__left <> old_industry").select(
+        "stock_id", "effective_date", F.lit("broken_link").alias("issue")
+    )
+    last = latest.groupBy("stock_id").agg(
+        F.max_by("new_industry", "effective_date").alias("said"), F.max("effective_date").alias("effective_date")
+    )
     a = anchored.where("anchor_on is null").select("stock_id", "anchor_code").distinct()
-    wrong = last.join(a, "stock_id").where("said <> anchor_code").select("stock_id", "effective_date", F.lit("anchor_disagrees").alias("issue"))
+    wrong = last.join(a, "stock_id").where("said <> anchor_code").select(
+        "stock_id", "effective_date", F.lit("anchor_disagrees").alias("issue")
+    )
     return outside.unionByName(links).unionByName(wrong)
 
 
 def quote_agreement(quotes: DataFrame, periods: DataFrame, lag_days: int = 10) -> DataFrame:
-    """Quotes against periods per day (H15): agree, no_period, known_lag (the period began within ``lag_days``) or differ."""
-    p = periods.select(F.col("stock_id").alias("__s"), F.col("industry_code").alias("__code"), "effective_from", "effective_to")
+    """Quotes against periods per day (H15): agree, no_period, known_lag (the period began within ``lag_days``) or
+    differ."""
+    p = periods.select(
+        F.col("stock_id").alias("__s"), F.col("industry_code").alias("__code"), "effective_from", "effective_to"
+    )
     hit = (quotes.stock_id == F.col("__s")) & contains(quotes.trade_date, "effective_from", "effective_to")
     j = quotes.join(p, hit, "left")
-    kind = F.when(F.col("__code").isNull(), "no_period").when(F.col("__code") == F.col("industry_code"), "agree").when(F.date_diff("trade_date", "effective_from") < lag_days, "known_lag").otherwise("differ")
+    kind = F.when(F.col("__code").isNull(), "no_period").when(F.col("__code") == F.col("industry_code"), "agree").when(
+        F.date_diff("trade_date", "effective_from") < lag_days, "known_lag"
+    ).otherwise("differ")
     classes = ("agree", "no_period", "known_lag", "differ")
-    return j.withColumn("__k", kind).groupBy("trade_date").agg(*[F.count_if(F.col("__k") == c).alias(c) for c in classes])
+    return j.withColumn("__k", kind).groupBy("trade_date").agg(
+        *[F.count_if(F.col("__k") == c).alias(c) for c in classes]
+    )
 
 
 def expected_category(asked: DataFrame, changes: DataFrame, anchored: DataFrame) -> DataFrame:
     """Category of (stock_id, trade_date) (H16): the next change's old, else the last change's new, else the anchor's.
 
     Both as-of lookups are one window over asked days and changes."""
-    marks = changes.select("stock_id", F.col("effective_date").alias("trade_date"), F.col("old_industry").alias("o"), F.col("new_industry").alias("n"), F.lit(0).alias("asked"))
-    rows = asked.select("stock_id", "trade_date", F.lit(None).cast("string").alias("o"), F.lit(None).cast("string").alias("n"), F.lit(1).alias("asked"))
+    marks = changes.select(
+        "stock_id",
+        F.col("effective_date").alias("trade_date"),
+        F.col("old_industry").alias("o"),
+        F.col("new_industry").alias("n"),
+        F.lit(0).alias("asked"),
+    )
+    rows = asked.select(
+        "stock_id",
+        "trade_date",
+        F.lit(None).cast("string").alias("o"),
+        F.lit(None).cast("string").alias("n"),
+        F.lit(1).alias("asked"),
+    )
     w = Window.partitionBy("stock_id").orderBy("trade_date", "asked")
-    placed = rows.unionByName(marks).select("*", F.first("o", True).over(w.rowsBetween(1, Window.unboundedFollowing)).alias("next_old"), F.last("n", True).over(w.rowsBetween(Window.unboundedPreceding, -1)).alias("last_new")).where("asked = 1")
+    placed = rows.unionByName(marks).select(
+        "*",
+        F.first("o", True).over(w.rowsBetween(1, Window.unboundedFollowing)).alias("next_old"),
+        F.last("n", True).over(w.rowsBetween(Window.unboundedPreceding, -1)).alias("last_new"),
+    ).where("asked = 1")
     a = anchored.groupBy("stock_id").agg(F.max("anchor_code").alias("anchor_code"))
-    return placed.join(a, "stock_id", "left").select("stock_id", "trade_date", F.coalesce("next_old", "last_new", "anchor_code").alias("expected"))
+    return placed.join(a, "stock_id", "left").select(
+        "stock_id", "trade_date", F.coalesce("next_old", "last_new", "anchor_code").alias("expected")
+    )
 
 
 def sweep_coverage(quotes: DataFrame, spans: DataFrame, placed: DataFrame, managed: DataFrame) -> DataFrame:
     """Listed and quoted stocks of a day that the sweep neither placed nor holds in the managed bucket."""
     s = spans.select(F.col("stock_id").alias("__s"), "listed_on", "delisted_on")
-    listed = quotes.select("stock_id", "trade_date").distinct().join(s, (F.col("stock_id") == F.col("__s")) & contains(F.col("trade_date")), "left_semi")
-    return listed.join(placed.select("stock_id", "trade_date"), ["stock_id", "trade_date"], "left_anti").join(managed.select("stock_id", "trade_date"), ["stock_id", "trade_date"], "left_anti")
+    listed = quotes.select("stock_id", "trade_date").distinct().join(
+        s, (F.col("stock_id") == F.col("__s")) & contains(F.col("trade_date")), "left_semi"
+    )
+    return listed.join(placed.select("stock_id", "trade_date"), ["stock_id", "trade_date"], "left_anti").join(
+        managed.select("stock_id", "trade_date"), ["stock_id", "trade_date"], "left_anti"
+    )
 
 
 def member_counts(a: DataFrame, b: DataFrame, by: Sequence[str] = ("market", "industry_code")) -> DataFrame:
     """Members per market and category in two sources, side by side."""
     left = a.groupBy(*by).agg(F.countDistinct("stock_id").alias("first"))
     right = b.groupBy(*by).agg(F.countDistinct("stock_id").alias("second"))
-    return left.join(right, list(by), "full").fillna(0, ["first", "second"]).withColumn("equal", F.col("first") == F.col("second"))
+    return left.join(right, list(by), "full").fillna(0, ["first", "second"]).withColumn(
+        "equal", F.col("first") == F.col("second")
+    )

@@ -3,4 +3,6 @@
 from tidemark.plans import queries_derived, queries_metrics, queries_panel, queries_pit, queries_quality
 from tidemark.plans.registry import ORACLE_SQL, QUERIES
 
-__all__ = ["ORACLE_SQL", "QUERIES", "queries_derived", "queries_metrics", "queries_panel", "queries_pit", "queries_quality"]
+__all__ = [
+    "ORACLE_SQL", "QUERIES", "queries_derived", "queries_metrics", "queries_panel", "queries_pit", "queries_quality"
+]

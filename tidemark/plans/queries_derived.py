@@ -23,7 +23,9 @@ DATASETS = derived.derived_datasets({"feed": "board"}, {"feed": "holders"})
 def revised(rows: DataFrame, date: str, wrong: dict[str, Column], late: Column, since: str) -> DataFrame:
     """All rows as recorded on their day; where ``late``, wrong then and right only after ``since``."""
     then = F.col(date).cast("timestamp_ntz") + F.expr("interval 20 hours")
-    first = rows.withColumn("recorded_at", then).withColumns({c: F.when(late, v).otherwise(F.col(c)) for c, v in wrong.items()})
+    first = rows.withColumn("recorded_at", then).withColumns(
+        {c: F.when(late, v).otherwise(F.col(c)) for c, v in wrong.items()}
+    )
     after = F.greatest(then + F.expr("interval 1 hour"), F.lit(since).cast("timestamp_ntz") + F.expr("interval 1 hour"))
     return first.unionByName(rows.where(late).withColumn("recorded_at", after))
 
@@ -53,7 +55,9 @@ def _late(*columns: str) -> Column:
 )
 def _(spark, d):
     late = _late(*KEY)
-    prices = revised(bars(spark, d), "trade_date", {"close": F.col("low"), "volume": F.col("volume") + 1}, late, LINES_SINCE)
+    prices = revised(
+        bars(spark, d), "trade_date", {"close": F.col("low"), "volume": F.col("volume") + 1}, late, LINES_SINCE
+    )
     out = updated("technical_indicators", {"daily_prices": prices}, {"daily_prices": tuple(KEY)}, LINES_SINCE)
     names = ["ma5", "ma240", "vma20"]
     return out.select(*KEY, *[F.round(c, 6).alias(c) for c in names], *[F.round(c, 4).alias(c) for c in ("k", "d")])
@@ -66,7 +70,12 @@ def _(spark, d):
     given = revised(f.select(*KEY, "net"), "trade_date", {"net": -F.col("net")}, late, EVENTS_SINCE)
     traded = f.select("stock_id", F.lit("board").alias("source"), "trade_date", "volume")
     traded = revised(traded, "trade_date", {"volume": F.lit(0).cast("bigint")}, late, EVENTS_SINCE)
-    out = updated("institutional_streaks", {"daily_prices": traded, "institutional_flows": given}, {"daily_prices": tuple(KEY), "institutional_flows": tuple(KEY)}, EVENTS_SINCE)
+    out = updated(
+        "institutional_streaks",
+        {"daily_prices": traded, "institutional_flows": given},
+        {"daily_prices": tuple(KEY), "institutional_flows": tuple(KEY)},
+        EVENTS_SINCE,
+    )
     return out.select(*KEY, F.col("net_streak_days").cast("bigint").alias("net_streak_days"))
 
 
@@ -75,10 +84,23 @@ def _(spark, d):
     f = flows(spark, d)
     late = _late(*KEY)
     given = revised(f.select(*KEY, "net"), "trade_date", {"net": F.col("net") + 5}, late, EVENTS_SINCE)
-    held = f.where("n_events % 3 <> 0").select("stock_id", F.lit("holders").alias("source"), "trade_date", (F.col("n_events") * 1000).alias("issued_shares"))
-    held = revised(held, "trade_date", {"issued_shares": F.col("issued_shares") + 1}, _late("stock_id", "trade_date"), EVENTS_SINCE)
-    out = updated("institutional_cumulative_flow", {"institutional_flows": given, "foreign_holdings": held}, {"institutional_flows": tuple(KEY), "foreign_holdings": tuple(KEY)}, EVENTS_SINCE)
-    return out.select(*KEY, F.col("net_cumulative_net").cast("bigint").alias("cumulative_net"), F.col("net_cumulative_ratio").alias("cumulative_ratio"))
+    held = f.where("n_events % 3 <> 0").select(
+        "stock_id", F.lit("holders").alias("source"), "trade_date", (F.col("n_events") * 1000).alias("issued_shares")
+    )
+    held = revised(
+        held, "trade_date", {"issued_shares": F.col("issued_shares") + 1}, _late("stock_id", "trade_date"), EVENTS_SINCE
+    )
+    out = updated(
+        "institutional_cumulative_flow",
+        {"institutional_flows": given, "foreign_holdings": held},
+        {"institutional_flows": tuple(KEY), "foreign_holdings": tuple(KEY)},
+        EVENTS_SINCE,
+    )
+    return out.select(
+        *KEY,
+        F.col("net_cumulative_net").cast("bigint").alias("cumulative_net"),
+        F.col("net_cumulative_ratio").alias("cumulative_ratio"),
+    )
 
 
 @query("incremental_concentration", days="snapshot_date", sql=q.CONCENTRATION_SQL)
@@ -86,20 +108,31 @@ def _(spark, d):
     key = [*SERIES, "snapshot_date"]
     wide = long_to_wide_levels(q.levels(spark, d), key)
     wrong = {"percent_15": F.col("percent_15") + 1, "holders_1": F.col("holders_1") + 1}
-    snapshots = revised(wide, "snapshot_date", {c: v.cast(wide.schema[c].dataType) for c, v in wrong.items()}, _late(*key), LINES_SINCE)
-    return updated("shareholding_concentration", {"shareholding_distributions": snapshots}, {"shareholding_distributions": tuple(key)}, LINES_SINCE)
+    snapshots = revised(
+        wide, "snapshot_date", {c: v.cast(wide.schema[c].dataType) for c, v in wrong.items()}, _late(*key), LINES_SINCE
+    )
+    return updated(
+        "shareholding_concentration",
+        {"shareholding_distributions": snapshots},
+        {"shareholding_distributions": tuple(key)},
+        LINES_SINCE,
+    )
 
 
 @query("incremental_margin", days="trade_date", sql=q.MARGIN_SQL)
 def _(spark, d):
-    given = revised(q.margin(spark, d), "trade_date", {"margin_balance": F.col("margin_balance") + 1}, _late(*KEY), LINES_SINCE)
+    given = revised(
+        q.margin(spark, d), "trade_date", {"margin_balance": F.col("margin_balance") + 1}, _late(*KEY), LINES_SINCE
+    )
     return updated("margin_metrics", {"margin_trading": given}, {"margin_trading": tuple(KEY)}, LINES_SINCE)
 
 
 @query("incremental_short_interest", days="trade_date", sql=q.SHORT_SQL)
 def _(spark, d):
     given = revised(q.lending(spark, d), "trade_date", {"balance": F.col("balance") + 1}, _late(*KEY), LINES_SINCE)
-    return updated("short_interest_metrics", {"securities_lending": given}, {"securities_lending": tuple(KEY)}, LINES_SINCE)
+    return updated(
+        "short_interest_metrics", {"securities_lending": given}, {"securities_lending": tuple(KEY)}, LINES_SINCE
+    )
 
 
 @query("incremental_valuation", days="trade_date", sql=q.VALUATION_SQL)

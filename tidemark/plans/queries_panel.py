@@ -21,48 +21,107 @@ def day(text):
 # Listing events: signups and errors of users, one a day and kind; the market by user.
 def listing_events(spark, d):
     e = table(spark, d, "events")
-    one = e.where("event_type in ('signup', 'error')").groupBy((F.col("user_id") % 1000).cast("string").alias("stock_id"), F.when(F.col("user_id") % 2 == 0, "sii").otherwise("otc").alias("market"), F.col("ts").cast("date").alias("on_date"), "event_type").agg(F.min("event_id").alias("i"))
-    rows = one.select("stock_id", "market", "on_date", F.concat(F.lit("n"), F.col("i").cast("string")).alias("name"), F.when(F.col("i") % 7 == 0, "innovation board").otherwise("").alias("note"), F.col("i").cast("string").alias("fetch_id"), "event_type")
+    one = e.where("event_type in ('signup', 'error')").groupBy(
+        (F.col("user_id") % 1000).cast("string").alias("stock_id"),
+        F.when(F.col("user_id") % 2 == 0, "sii").otherwise("otc").alias("market"),
+        F.col("ts").cast("date").alias("on_date"),
+        "event_type",
+    ).agg(F.min("event_id").alias("i"))
+    rows = one.select(
+        "stock_id",
+        "market",
+        "on_date",
+        F.concat(F.lit("n"), F.col("i").cast("string")).alias("name"),
+        F.when(F.col("i") % 7 == 0, "innovation board").otherwise("").alias("note"),
+        F.col("i").cast("string").alias("fetch_id"),
+        "event_type",
+    )
     return rows.where("event_type = 'signup'").drop("event_type"), rows.where("event_type = 'error'").drop("event_type")
 
 
 def today(spark, d):
     e = table(spark, d, "events").select("user_id").distinct().where("user_id % 3 <> 0")
     u = F.col("user_id")
-    return e.select((u % 1000).cast("string").alias("stock_id"), F.when(u % 2 == 0, "sii").otherwise("otc").alias("market"), F.concat(F.lit("t"), u.cast("string")).alias("name"), (u % 5).cast("string").alias("industry"), (u % 5).cast("string").alias("industry_code"), F.date_add(day("2024-01-01"), (u % 30).cast("int")).alias("listed_on"))
+    return e.select(
+        (u % 1000).cast("string").alias("stock_id"),
+        F.when(u % 2 == 0, "sii").otherwise("otc").alias("market"),
+        F.concat(F.lit("t"), u.cast("string")).alias("name"),
+        (u % 5).cast("string").alias("industry"),
+        (u % 5).cast("string").alias("industry_code"),
+        F.date_add(day("2024-01-01"), (u % 30).cast("int")).alias("listed_on"),
+    )
 
 
 def lookups(spark, d):
     e = table(spark, d, "events").select("user_id").distinct().where("user_id % 4 <> 1")
     u = F.col("user_id")
-    return e.select((u % 1000).cast("string").alias("stock_id"), F.concat(F.lit("k"), u.cast("string")).alias("name"), F.lit("x").alias("industry"), F.when(u % 5 == 0, "fund").otherwise("stock").alias("category"), F.when(u % 6 != 0, F.date_add(day("2023-12-20"), (u % 30).cast("int"))).alias("registered_on"))
-
-
-_LIST = """with ev as (select (user_id % 1000)::varchar as stock_id, case when user_id % 2 = 0 then 'sii' else 'otc' end as market, ts::date as on_date, event_type, min(event_id) as i from events where event_type in ('signup', 'error') group by 1, 2, 3, 4),
-    e2 as (select *, case when event_type = 'signup' then 1 else 0 end as up from ev), ep as (select *, coalesce(sum(1 - up) over (partition by stock_id, market order by on_date, up rows between unbounded preceding and 1 preceding), 0) as episode from e2),
-    pairs as (select stock_id, market, any_value(ep.episode)::int as episode, max(on_date) filter (up = 1) as listed_on, max(on_date) filter (up = 0) as delisted_on, arg_max(i, on_date) filter (up = 1) as note_i,
-        case when count(*) filter (up = 1) > 1 then 'listed_twice' when count(*) filter (up = 1) = 0 and any_value(ep.episode) > 0 then 'delisted_twice' end as problem from ep group by stock_id, market, ep.episode),
-    today as (select distinct (user_id % 1000)::varchar as stock_id, case when user_id % 2 = 0 then 'sii' else 'otc' end as market, 't' || user_id as name, date '2024-01-01' + (user_id % 30)::int as isin from events where user_id % 3 <> 0),
-    look as (select distinct (user_id % 1000)::varchar as stock_id, 'k' || user_id as name, case when user_id % 5 = 0 then 'fund' else 'stock' end as category, case when user_id % 6 <> 0 then date '2023-12-20' + (user_id % 30)::int end as reg from events where user_id % 4 <> 1)"""
-
-
-@query("span_pairs", days="listed_on delisted_on", sql=f"{_LIST} select stock_id, market, episode, listed_on, delisted_on, problem from pairs")
-def _(spark, d):
-    return spans.pair_events(*listing_events(spark, d)).select("stock_id", "market", F.col("episode").cast("int").alias("episode"), "listed_on", "delisted_on", "problem")
-
-
-@query("span_needs_lookup", f"{_LIST} select distinct stock_id from pairs where delisted_on >= date '2024-01-05' and listed_on is null")
+    return e.select(
+        (u % 1000).cast("string").alias("stock_id"),
+        F.concat(F.lit("k"), u.cast("string")).alias("name"),
+        F.lit("x").alias("industry"),
+        F.when(u % 5 == 0, "fund").otherwise("stock").alias("category"),
+        F.when(u % 6 != 0, F.date_add(day("2023-12-20"), (u % 30).cast("int"))).alias("registered_on"),
+    )
+
+
+_LIST = """with ev as (select (user_id % 1000)::varchar as stock_id, case when user_id % 2 = 0 then 'sii' else 'otc'
+    end as market, ts::date as on_date, event_type, min(event_id) as i from events where event_type in ('signup',
+    'error') group by 1, 2, 3, 4),
+    e2 as (select *, case when event_type = 'signup' then 1 else 0 end as up from ev), ep as (select *, coalesce(sum(1
+    - up) over (partition by stock_id, market order by on_date, up rows between unbounded preceding and 1 preceding),
+    0) as episode from e2),
+    pairs as (select stock_id, market, any_value(ep.episode)::int as episode, max(on_date) filter (up = 1) as
+    listed_on, max(on_date) filter (up = 0) as delisted_on, arg_max(i, on_date) filter (up = 1) as note_i,
+        case when count(*) filter (up = 1) > 1 then 'listed_twice' when count(*) filter (up = 1) = 0 and
+        any_value(ep.episode) > 0 then 'delisted_twice' end as problem from ep group by stock_id, market, ep.episode),
+    today as (select distinct (user_id % 1000)::varchar as stock_id, case when user_id % 2 = 0 then 'sii' else 'otc'
+    end as market, 't' || user_id as name, date '2024-01-01' + (user_id % 30)::int as isin from events where user_id %
+    3 <> 0),
+    look as (select distinct (user_id % 1000)::varchar as stock_id, 'k' || user_id as name, case when user_id % 5 = 0
+    then 'fund' else 'stock' end as category, case when user_id % 6 <> 0 then date '2023-12-20' + (user_id % 30)::int
+    end as reg from events where user_id % 4 <> 1)"""
+
+
+@query(
+    "span_pairs",
+    days="listed_on delisted_on",
+    sql=f"{_LIST} select stock_id, market, episode, listed_on, delisted_on, problem from pairs",
+)
+def _(spark, d):
+    return spans.pair_events(*listing_events(spark, d)).select(
+        "stock_id", "market", F.col("episode").cast("int").alias("episode"), "listed_on", "delisted_on", "problem"
+    )
+
+
+@query(
+    "span_needs_lookup",
+    f"""{_LIST} select distinct stock_id from pairs where delisted_on >= date '2024-01-05' and listed_on is null""",
+)
 def _(spark, d):
     return spans.needs_lookup(spans.pair_events(*listing_events(spark, d)), day("2024-01-05"))
 
 
-_DECIDE = f"""{_LIST}, j as (select p.*, t.isin, t.stock_id is not null as on_list, l.stock_id is not null as found, l.reg, l.category, p.listed_on is not null and note_i % 7 = 0 as board from pairs p left join today t using (stock_id, market) left join look l on l.stock_id = p.stock_id),
-    v as (select *, case when delisted_on < date '2024-01-05' then 'before_window' when problem is not null then 'quarantined' when delisted_on is null and on_list then 'span' when board then 'excluded' when delisted_on is null then 'quarantined' when listed_on is not null then 'span' when not found then 'quarantined' when reg is null or reg > delisted_on then 'quarantined' when category <> 'stock' then 'excluded' else 'span' end as decision,
-        case when delisted_on < date '2024-01-05' then null when problem is not null then problem when delisted_on is null and on_list then null when board then 'innovation_board' when delisted_on is null then 'listed_not_on_isin' when listed_on is not null then null when not found then 'unproven_category' when reg is null or reg > delisted_on then 'isin_lookup_is_another_security' when category <> 'stock' then 'category:' || category end as reason from j),
-    st as (select stock_id, market, bool_or(decision = 'span' and delisted_on is null) as op, max(delisted_on) as z, bool_or(delisted_on is null and problem is not null) as amb from v group by 1, 2),
-    own as (select t.stock_id, t.market, z, case when (z is not null or coalesce(amb, false)) and (z is null or isin >= z) then isin end as s from today t left join st using (stock_id, market) where not coalesce(op, false)),
-    decided as (select stock_id, market, decision, reason, case when delisted_on is null and board then isin else listed_on end as listed_on, delisted_on, delisted_on is not null and listed_on is null and decision = 'span' as by_lookup from v
-        union all select stock_id, market, 'span', null, s, null, false from own union all select stock_id, market, 'warning', 'relisted_without_listing_row', null, null, false from own where z is not null)"""
+_DECIDE = f"""{_LIST}, j as (select p.*, t.isin, t.stock_id is not null as on_list, l.stock_id is not null as found,
+    l.reg, l.category, p.listed_on is not null and note_i % 7 = 0 as board from pairs p left join today t using
+    (stock_id, market) left join look l on l.stock_id = p.stock_id),
+    v as (select *, case when delisted_on < date '2024-01-05' then 'before_window' when problem is not null then
+    'quarantined' when delisted_on is null and on_list then 'span' when board then 'excluded' when delisted_on is null
+    then 'quarantined' when listed_on is not null then 'span' when not found then 'quarantined' when reg is null or
+    reg > delisted_on then 'quarantined' when category <> 'stock' then 'excluded' else 'span' end as decision,
+        case when delisted_on < date '2024-01-05' then null when problem is not null then problem when delisted_on is
+        null and on_list then null when board then 'innovation_board' when delisted_on is null then
+        'listed_not_on_isin' when listed_on is not null then null when not found then 'unproven_category' when reg is
+        null or reg > delisted_on then 'isin_lookup_is_another_security' when category <> 'stock' then 'category:' ||
+        category end as reason from j),
+    st as (select stock_id, market, bool_or(decision = 'span' and delisted_on is null) as op, max(delisted_on) as z,
+    bool_or(delisted_on is null and problem is not null) as amb from v group by 1, 2),
+    own as (select t.stock_id, t.market, z, case when (z is not null or coalesce(amb, false)) and (z is null or isin
+    >= z) then isin end as s from today t left join st using (stock_id, market) where not coalesce(op, false)),
+    decided as (select stock_id, market, decision, reason, case when delisted_on is null and board then isin else
+    listed_on end as listed_on, delisted_on, delisted_on is not null and listed_on is null and decision = 'span' as
+    by_lookup from v
+        union all select stock_id, market, 'span', null, s, null, false from own union all select stock_id, market,
+        'warning', 'relisted_without_listing_row', null, null, false from own where z is not null)"""
 
 
 def decided(spark, d):
@@ -75,72 +134,155 @@ def _(spark, d):
     return decided(spark, d)
 
 
-@query("span_company_identity", f"""{_DECIDE}, k as (select stock_id, bool_or(by_lookup) as b from decided where decision = 'span' group by 1), last as (select stock_id, arg_max('n' || i, on_date::varchar || market || 'n' || i) as n from e2 group by 1)
-    select k.stock_id, case when t.stock_id is not null then t.name when b and l.stock_id is not null then l.name else last.n end as name from k left join today t using (stock_id) left join look l using (stock_id) left join last using (stock_id)""")
+@query(
+    "span_company_identity",
+    f"""{_DECIDE}, k as (select stock_id, bool_or(by_lookup) as b from decided where decision = 'span' group by 1),
+    last as (select stock_id, arg_max('n' || i, on_date::varchar || market || 'n' || i) as n from e2 group by 1)
+    select k.stock_id, case when t.stock_id is not null then t.name when b and l.stock_id is not null then l.name else
+    last.n end as name from k left join today t using (stock_id) left join look l using (stock_id) left join last
+    using (stock_id)""",
+)
 def _(spark, d):
     up, down = listing_events(spark, d)
-    return spans.company_identity(decided(spark, d), today(spark, d), lookups(spark, d), up, down).select("stock_id", "name")
+    return spans.company_identity(
+        decided(spark, d), today(spark, d), lookups(spark, d), up, down
+    ).select("stock_id", "name")
 
 
 def span_table(spark, d):
     """Proven spans, one a stock (the last), from users: listed by the first event, ended for some."""
-    e = table(spark, d, "events").groupBy("user_id").agg(F.min(F.col("ts").cast("date")).alias("a"), F.max(F.col("ts").cast("date")).alias("z"))
+    e = table(spark, d, "events").groupBy("user_id").agg(
+        F.min(F.col("ts").cast("date")).alias("a"), F.max(F.col("ts").cast("date")).alias("z")
+    )
     u = F.col("user_id")
-    return e.select(u.cast("string").alias("stock_id"), F.when(u % 2 == 0, "sii").otherwise("otc").alias("market"), F.when(u % 9 != 0, F.col("a")).alias("listed_on"), F.when(u % 5 == 0, F.col("z")).alias("delisted_on"))
+    return e.select(
+        u.cast("string").alias("stock_id"),
+        F.when(u % 2 == 0, "sii").otherwise("otc").alias("market"),
+        F.when(u % 9 != 0, F.col("a")).alias("listed_on"),
+        F.when(u % 5 == 0, F.col("z")).alias("delisted_on"),
+    )
 
 
-_SPANS = """with spans as (select user_id::varchar as stock_id, case when user_id % 2 = 0 then 'sii' else 'otc' end as market, case when user_id % 9 <> 0 then min(ts::date) end as listed_on, case when user_id % 5 = 0 then max(ts::date) end as delisted_on from events group by user_id)"""
+_SPANS = """with spans as (select user_id::varchar as stock_id, case when user_id % 2 = 0 then 'sii' else 'otc' end as
+    market, case when user_id % 9 <> 0 then min(ts::date) end as listed_on, case when user_id % 5 = 0 then
+    max(ts::date) end as delisted_on from events group by user_id)"""
 
 
-@query("span_members", days="listed_on delisted_on", sql=f"{_SPANS} select * from spans where (listed_on is null or listed_on <= date '2024-01-15') and (delisted_on is null or delisted_on > date '2024-01-15')")
+@query(
+    "span_members",
+    days="listed_on delisted_on",
+    sql=f"""{_SPANS} select * from spans where (listed_on is null or listed_on <= date '2024-01-15') and (delisted_on
+    is null or delisted_on > date '2024-01-15')""",
+)
 def _(spark, d):
     return spans.members(span_table(spark, d), day("2024-01-15"))
 
 
-@query("span_stock_records", f"""{_SPANS}, two as (select * from spans union all select stock_id, 'old', date '2020-01-01', date '2021-01-01' from spans where stock_id::int % 3 = 0)
-    select stock_id, max(market) filter (delisted_on is null) as current_market, string_agg(market || ':' || coalesce(listed_on::varchar, '-') || ':' || coalesce(delisted_on::varchar, '-'), ',' order by listed_on nulls first) as spans from two group by 1""")
+@query(
+    "span_stock_records",
+    f"""{_SPANS}, two as (select * from spans union all select stock_id, 'old', date '2020-01-01', date '2021-01-01'
+    from spans where stock_id::int % 3 = 0)
+    select stock_id, max(market) filter (delisted_on is null) as current_market, string_agg(market || ':' ||
+    coalesce(listed_on::varchar, '-') || ':' || coalesce(delisted_on::varchar, '-'), ',' order by listed_on nulls
+    first) as spans from two group by 1""",
+)
 def _(spark, d):
     s = span_table(spark, d)
-    two = s.unionByName(s.where("cast(stock_id as int) % 3 = 0").select("stock_id", F.lit("old").alias("market"), day("2020-01-01").alias("listed_on"), day("2021-01-01").alias("delisted_on")))
+    two = s.unionByName(
+        s.where("cast(stock_id as int) % 3 = 0").select(
+            "stock_id",
+            F.lit("old").alias("market"),
+            day("2020-01-01").alias("listed_on"),
+            day("2021-01-01").alias("delisted_on"),
+        )
+    )
     r = spans.stock_records(s.select("stock_id"), two)
-    text = F.array_join(F.transform("spans", lambda x: F.concat_ws(":", x["market"], F.coalesce(x["listed_on"].cast("string"), F.lit("-")), F.coalesce(x["delisted_on"].cast("string"), F.lit("-")))), ",")
+    text = F.array_join(
+        F.transform(
+            "spans",
+            lambda x: F.concat_ws(
+                ":",
+                x["market"],
+                F.coalesce(x["listed_on"].cast("string"), F.lit("-")),
+                F.coalesce(x["delisted_on"].cast("string"), F.lit("-")),
+            ),
+        ),
+        ",",
+    )
     return r.select("stock_id", "current_market", text.alias("spans"))
 
 
 def changes(spark, d):
-    """Category changes from errors: old and new category by event, announced three days before, re-announced for some."""
+    """Category changes from errors: old and new category by event, announced three days before, re-announced for
+    some."""
     e = table(spark, d, "events").where("event_type = 'error'")
     i = F.col("event_id")
-    g = e.groupBy(F.col("user_id").cast("string").alias("stock_id"), F.col("ts").cast("date").alias("effective_date")).agg(F.min("event_id").alias("event_id"))
-    base = g.select("stock_id", F.lit("notice").alias("source"), "effective_date", F.date_sub("effective_date", 3).alias("announced_on"), (i % 5).cast("string").alias("old_industry"), (i % 4 + 1).cast("string").alias("new_industry"), (F.date_sub("effective_date", 3).cast("timestamp_ntz") + F.expr("interval 20 hours")).alias("recorded_at"), "event_id")
-    again = base.where("event_id % 2 = 0").withColumn("new_industry", (i % 3 + 1).cast("string")).withColumn("recorded_at", F.col("effective_date").cast("timestamp_ntz") + F.expr("interval 30 hours"))
+    g = e.groupBy(
+        F.col("user_id").cast("string").alias("stock_id"), F.col("ts").cast("date").alias("effective_date")
+    ).agg(F.min("event_id").alias("event_id"))
+    base = g.select(
+        "stock_id",
+        F.lit("notice").alias("source"),
+        "effective_date",
+        F.date_sub("effective_date", 3).alias("announced_on"),
+        (i % 5).cast("string").alias("old_industry"),
+        (i % 4 + 1).cast("string").alias("new_industry"),
+        (F.date_sub("effective_date", 3).cast("timestamp_ntz") + F.expr("interval 20 hours")).alias("recorded_at"),
+        "event_id",
+    )
+    again = base.where("event_id % 2 = 0").withColumn("new_industry", (i % 3 + 1).cast("string")).withColumn(
+        "recorded_at", F.col("effective_date").cast("timestamp_ntz") + F.expr("interval 30 hours")
+    )
     return base.unionByName(again).drop("event_id")
 
 
-_CHG = """chg0 as (select user_id::varchar as stock_id, ts::date as effective_date, min(event_id) as i from events where event_type = 'error' group by 1, 2),
-    chg as (select stock_id, effective_date, effective_date - 3 as announced_on, (i % 5)::varchar as old_industry, (i % 4 + 1)::varchar as new_industry, (effective_date - 3)::timestamp + interval 20 hour as recorded_at from chg0
-        union all select stock_id, effective_date, effective_date - 3, (i % 5)::varchar, (i % 3 + 1)::varchar, effective_date::timestamp + interval 30 hour from chg0 where i % 2 = 0),
-    cv0 as (select *, (announced_on + 1)::timestamp - interval 8 hour as released from chg), cv as (select *, case when recorded_at >= released and recorded_at > min(case when recorded_at >= released then recorded_at end) over (partition by stock_id, effective_date) then recorded_at else released end as available_at from cv0)"""
+_CHG = """chg0 as (select user_id::varchar as stock_id, ts::date as effective_date, min(event_id) as i from events
+    where event_type = 'error' group by 1, 2),
+    chg as (select stock_id, effective_date, effective_date - 3 as announced_on, (i % 5)::varchar as old_industry, (i
+    % 4 + 1)::varchar as new_industry, (effective_date - 3)::timestamp + interval 20 hour as recorded_at from chg0
+        union all select stock_id, effective_date, effective_date - 3, (i % 5)::varchar, (i % 3 + 1)::varchar,
+        effective_date::timestamp + interval 30 hour from chg0 where i % 2 = 0),
+    cv0 as (select *, (announced_on + 1)::timestamp - interval 8 hour as released from chg), cv as (select *, case
+    when recorded_at >= released and recorded_at > min(case when recorded_at >= released then recorded_at end) over
+    (partition by stock_id, effective_date) then recorded_at else released end as available_at from cv0)"""
 
 
-@query("span_change_versions", days="effective_date", sql=f"with {_CHG} select stock_id, effective_date, new_industry, recorded_at, available_at from cv")
+@query(
+    "span_change_versions",
+    days="effective_date",
+    sql=f"""with {_CHG} select stock_id, effective_date, new_industry, recorded_at, available_at from cv""",
+)
 def _(spark, d):
-    return spans.change_versions(changes(spark, d)).select("stock_id", "effective_date", "new_industry", "recorded_at", "available_at")
+    return spans.change_versions(changes(spark, d)).select(
+        "stock_id", "effective_date", "new_industry", "recorded_at", "available_at"
+    )
 
 
 def quotes(spark, d):
     e = table(spark, d, "events")
-    return e.groupBy(F.col("user_id").cast("string").alias("stock_id"), F.lit("quote").alias("source"), F.col("ts").cast("date").alias("trade_date")).agg((F.min("event_id") % 5).cast("string").alias("industry_code"), F.max("ts").alias("recorded_at"))
-
-
-_QUOTES = """quotes as (select user_id::varchar as stock_id, ts::date as trade_date, (min(event_id) % 5)::varchar as industry_code, max(ts) as recorded_at from events group by 1, 2)"""
-_ANCHOR = f"""{_SPANS}, {_QUOTES}, tod as (select distinct user_id::varchar as stock_id, (user_id % 5)::varchar as c from events),
-    anc as (select s.*, arg_max(q.industry_code, q.trade_date) as anchor_code, max(q.trade_date) as anchor_on from spans s join quotes q on q.stock_id = s.stock_id and (listed_on is null or trade_date >= listed_on) and trade_date < delisted_on and q.recorded_at <= timestamp '2024-01-25' group by 1, 2, 3, 4
+    return e.groupBy(
+        F.col("user_id").cast("string").alias("stock_id"),
+        F.lit("quote").alias("source"),
+        F.col("ts").cast("date").alias("trade_date"),
+    ).agg(
+        (F.min("event_id") % 5).cast("string").alias("industry_code"), F.max("ts").alias("recorded_at")
+    )
+
+
+_QUOTES = """quotes as (select user_id::varchar as stock_id, ts::date as trade_date, (min(event_id) % 5)::varchar as
+    industry_code, max(ts) as recorded_at from events group by 1, 2)"""
+_ANCHOR = f"""{_SPANS}, {_QUOTES}, tod as (select distinct user_id::varchar as stock_id, (user_id % 5)::varchar as c
+    from events),
+    anc as (select s.*, arg_max(q.industry_code, q.trade_date) as anchor_code, max(q.trade_date) as anchor_on from
+    spans s join quotes q on q.stock_id = s.stock_id and (listed_on is null or trade_date >= listed_on) and trade_date
+    < delisted_on and q.recorded_at <= timestamp '2024-01-25' group by 1, 2, 3, 4
         union all select s.*, c, null from spans s join tod using (stock_id) where delisted_on is null)"""
 
 
 def anchored(spark, d):
-    e = table(spark, d, "events").select("user_id").distinct().select(F.col("user_id").cast("string").alias("stock_id"), (F.col("user_id") % 5).cast("string").alias("industry_code"))
+    e = table(spark, d, "events").select("user_id").distinct().select(
+        F.col("user_id").cast("string").alias("stock_id"), (F.col("user_id") % 5).cast("string").alias("industry_code")
+    )
     return spans.anchors(span_table(spark, d), e, quotes(spark, d), F.lit("2024-01-25").cast("timestamp_ntz"))
 
 
@@ -150,12 +292,24 @@ def _(spark, d):
 
 
 def categories(spark):
-    return spark.sql("select cast(c as string) as code, m as market, case when c = 3 then date'2024-01-10' end as valid_from, case when c = 4 then date'2024-01-20' end as valid_to, case when c = 2 then date'2024-01-12' end as renamed_on from (select explode(sequence(0, 4)) as c) cross join (select explode(array('sii', 'otc')) as m)")
+    return spark.sql(
+        """select cast(c as string) as code, m as market, case when c = 3 then date'2024-01-10' end as valid_from,
+    case when c = 4 then date'2024-01-20' end as valid_to, case when c = 2 then date'2024-01-12' end as renamed_on
+    from (select explode(sequence(0, 4)) as c) cross join (select explode(array('sii', 'otc')) as m)"""
+    )
 
 
 def periods(spark, d):
     t = lambda x: F.lit(x).cast("timestamp_ntz")
-    return spans.category_periods(span_table(spark, d), spans.change_versions(changes(spark, d)), anchored(spark, d), categories(spark), t("2024-01-22 00:00:00"), t("2024-01-25 00:00:00"), t("2024-01-05 00:00:00"))
+    return spans.category_periods(
+        span_table(spark, d),
+        spans.change_versions(changes(spark, d)),
+        anchored(spark, d),
+        categories(spark),
+        t("2024-01-22 00:00:00"),
+        t("2024-01-25 00:00:00"),
+        t("2024-01-05 00:00:00"),
+    )
 
 
 @query("span_category_periods")
@@ -173,36 +327,78 @@ def overlap_and_last(spark, d):
     return a.unionByName(b)
 
 
-@query("span_chain_issues", days="effective_date", sql=f"""{_ANCHOR}, {_CHG}, l as (select stock_id, effective_date, arg_max(old_industry, recorded_at) as o, arg_max(new_industry, recorded_at) as n from chg group by 1, 2), w as (select *, lag(n) over (partition by stock_id order by effective_date) as before from l)
-    select l.stock_id, l.effective_date, 'outside_span' as issue from l where not exists (select 1 from spans s where s.stock_id = l.stock_id and (listed_on is null or l.effective_date >= listed_on) and (delisted_on is null or l.effective_date < delisted_on))
+@query(
+    "span_chain_issues",
+    days="effective_date",
+    sql=f"""{_ANCHOR}, {_CHG}, l as (select stock_id, effective_date, arg_max(old_industry, recorded_at) as o,
+    arg_max(new_industry, recorded_at) as n from chg group by 1, 2), w as (select *, lag(n) over (partition by
+    stock_id order by effective_date) as before from l)
+    select l.stock_id, l.effective_date, 'outside_span' as issue from l where not exists (select 1 from spans s where
+    s.stock_id = l.stock_id and (listed_on is null or l.effective_date >= listed_on) and (delisted_on is null or
+    l.effective_date < delisted_on))
     union all select stock_id, effective_date, 'broken_link' from w where before <> o
-    union all select x.stock_id, x.effective_date, 'anchor_disagrees' from (select stock_id, max(effective_date) as effective_date, arg_max(n, effective_date) as said from l group by 1) x join anc a on a.stock_id = x.stock_id and a.anchor_on is null where said <> anchor_code""")
+    union all select x.stock_id, x.effective_date, 'anchor_disagrees' from (select stock_id, max(effective_date) as
+    effective_date, arg_max(n, effective_date) as said from l group by 1) x join anc a on a.stock_id = x.stock_id and
+    a.anchor_on is null where said <> anchor_code""",
+)
 def _(spark, d):
     return spans.chain_issues(span_table(spark, d), changes(spark, d), anchored(spark, d))
 
 
-@query("span_quote_agreement", days="trade_date", sql=f"""with {_QUOTES}, p as (select user_id::varchar as stock_id, (user_id % 5)::varchar as c, date '2024-01-03' + (user_id % 10)::int as a, case when user_id % 4 = 0 then date '2024-01-20' end as z from events group by user_id)
-    select q.trade_date, count(*) filter (c = industry_code) as agree, count(*) filter (c is null) as no_period, count(*) filter (c <> industry_code and trade_date - a < 10) as known_lag, count(*) filter (c <> industry_code and trade_date - a >= 10) as differ from quotes q left join p on p.stock_id = q.stock_id and trade_date >= a and (z is null or trade_date < z) group by 1""")
+@query(
+    "span_quote_agreement",
+    days="trade_date",
+    sql=f"""with {_QUOTES}, p as (select user_id::varchar as stock_id, (user_id % 5)::varchar as c, date '2024-01-03'
+    + (user_id % 10)::int as a, case when user_id % 4 = 0 then date '2024-01-20' end as z from events group by user_id)
+    select q.trade_date, count(*) filter (c = industry_code) as agree, count(*) filter (c is null) as no_period,
+    count(*) filter (c <> industry_code and trade_date - a < 10) as known_lag, count(*) filter (c <> industry_code and
+    trade_date - a >= 10) as differ from quotes q left join p on p.stock_id = q.stock_id and trade_date >= a and (z is
+    null or trade_date < z) group by 1""",
+)
 def _(spark, d):
     u = F.col("user_id")
-    p = table(spark, d, "events").select("user_id").distinct().select(u.cast("string").alias("stock_id"), (u % 5).cast("string").alias("industry_code"), F.date_add(day("2024-01-03"), (u % 10).cast("int")).alias("effective_from"), F.when(u % 4 == 0, day("2024-01-20")).alias("effective_to"))
+    p = table(spark, d, "events").select("user_id").distinct().select(
+        u.cast("string").alias("stock_id"),
+        (u % 5).cast("string").alias("industry_code"),
+        F.date_add(day("2024-01-03"), (u % 10).cast("int")).alias("effective_from"),
+        F.when(u % 4 == 0, day("2024-01-20")).alias("effective_to"),
+    )
     return spans.quote_agreement(quotes(spark, d), p)
 
 
-@query("span_expected_category", days="trade_date", sql=f"""{_ANCHOR}, {_CHG}, l as (select stock_id, effective_date, arg_max(old_industry, recorded_at) as o, arg_max(new_industry, recorded_at) as n from chg group by 1, 2), a as (select stock_id, max(anchor_code) as c from anc group by 1)
-    select q.stock_id, q.trade_date, coalesce((select arg_min(o, effective_date) from l where l.stock_id = q.stock_id and effective_date > q.trade_date), (select arg_max(n, effective_date) from l where l.stock_id = q.stock_id and effective_date <= q.trade_date), a.c) as expected from quotes q left join a on a.stock_id = q.stock_id""")
+@query(
+    "span_expected_category",
+    days="trade_date",
+    sql=f"""{_ANCHOR}, {_CHG}, l as (select stock_id, effective_date, arg_max(old_industry, recorded_at) as o,
+    arg_max(new_industry, recorded_at) as n from chg group by 1, 2), a as (select stock_id, max(anchor_code) as c from
+    anc group by 1)
+    select q.stock_id, q.trade_date, coalesce((select arg_min(o, effective_date) from l where l.stock_id = q.stock_id
+    and effective_date > q.trade_date), (select arg_max(n, effective_date) from l where l.stock_id = q.stock_id and
+    effective_date <= q.trade_date), a.c) as expected from quotes q left join a on a.stock_id = q.stock_id""",
+)
 def _(spark, d):
     latest = pit.latest_per_key(changes(spark, d), ["stock_id", "source", "effective_date"])
     return spans.expected_category(quotes(spark, d), latest, anchored(spark, d))
 
 
-@query("span_sweep_coverage", days="trade_date", sql=f"""{_SPANS}, {_QUOTES} select stock_id, trade_date from quotes q where exists (select 1 from spans s where s.stock_id = q.stock_id and (listed_on is null or trade_date >= listed_on) and (delisted_on is null or trade_date < delisted_on)) and industry_code not in ('0', '1')""")
+@query(
+    "span_sweep_coverage",
+    days="trade_date",
+    sql=f"""{_SPANS}, {_QUOTES} select stock_id, trade_date from quotes q where exists (select 1 from spans s where
+    s.stock_id = q.stock_id and (listed_on is null or trade_date >= listed_on) and (delisted_on is null or trade_date
+    < delisted_on)) and industry_code not in ('0', '1')""",
+)
 def _(spark, d):
     q = quotes(spark, d)
     return spans.sweep_coverage(q, span_table(spark, d), q.where("industry_code = '0'"), q.where("industry_code = '1'"))
 
 
-@query("span_member_counts", f"""{_SPANS}, x as (select market, (stock_id::int % 5)::varchar as industry_code, count(*) as n, count(*) filter (stock_id::int % 7 <> 0) as m from spans group by 1, 2) select market, industry_code, n as first, m as second, n = m as equal from x""")
+@query(
+    "span_member_counts",
+    f"""{_SPANS}, x as (select market, (stock_id::int % 5)::varchar as industry_code, count(*) as n, count(*) filter
+    (stock_id::int % 7 <> 0) as m from spans group by 1, 2) select market, industry_code, n as first, m as second, n =
+    m as equal from x""",
+)
 def _(spark, d):
     s = span_table(spark, d).withColumn("industry_code", (F.col("stock_id").cast("int") % 5).cast("string"))
     return spans.member_counts(s, s.where("cast(stock_id as int) % 7 <> 0"))
@@ -211,109 +407,247 @@ def _(spark, d):
 UNSOURCED = {"alpha": ["low"], "beta": ["open", "high"]}
 
 
-@query("panel_unsourced", f"""{with_('bars')} select source, count(*) as n, count(open) as opens, count(high) as highs, count(low) as lows, case source when 'alpha' then 'low' else 'high,open' end as unsourced from
-    (select source, case when source = 'alpha' then open end as open, case when source = 'alpha' then high end as high, case when source = 'beta' then low end as low from bars) group by 1""")
+@query(
+    "panel_unsourced",
+    f"""{with_('bars')} select source, count(*) as n, count(open) as opens, count(high) as highs, count(low) as lows,
+    case source when 'alpha' then 'low' else 'high,open' end as unsourced from
+    (select source, case when source = 'alpha' then open end as open, case when source = 'alpha' then high end as
+    high, case when source = 'beta' then low end as low from bars) group by 1""",
+)
 def _(spark, d):
     m = panel.mark_unsourced(bars(spark, d), UNSOURCED)
-    return m.groupBy("source", F.array_join("unsourced", ",").alias("unsourced")).agg(F.count("*").alias("n"), F.count("open").alias("opens"), F.count("high").alias("highs"), F.count("low").alias("lows"))
+    return m.groupBy("source", F.array_join("unsourced", ",").alias("unsourced")).agg(
+        F.count("*").alias("n"),
+        F.count("open").alias("opens"),
+        F.count("high").alias("highs"),
+        F.count("low").alias("lows"),
+    )
 
 
-@query("panel_unsourced_audit", f"""{with_('bars')} select source, c as column, count(*) as n_values from (select 'alpha' as source, 'low' as c from bars where source = 'alpha' union all select 'beta', 'open' from bars where source = 'beta' union all select 'beta', 'high' from bars where source = 'beta') group by 1, 2""")
+@query(
+    "panel_unsourced_audit",
+    f"""{with_('bars')} select source, c as column, count(*) as n_values from (select 'alpha' as source, 'low' as c
+    from bars where source = 'alpha' union all select 'beta', 'open' from bars where source = 'beta' union all select
+    'beta', 'high' from bars where source = 'beta') group by 1, 2""",
+)
 def _(spark, d):
     return panel.unsourced_audit(bars(spark, d), UNSOURCED)
 
 
-@query("panel_json_rows", f"""{with_('flows')} select '{{"stock_id":"' || stock_id || '"' || case when stock_id::int % 2 = 0 then ',"net":' || coalesce(net::varchar, 'null') else '' end || '}}' as json from flows""")
+@query(
+    "panel_json_rows",
+    f"""{with_('flows')} select
+    '{{"stock_id":"' || stock_id || '"' || case when stock_id::int % 2 = 0 then ',"net":' || coalesce(net::varchar, 'null') else '' end || '}}'
+    as json from flows""",
+)
 def _(spark, d):
     f = flows(spark, d).withColumn("source", F.when(F.col("stock_id").cast("int") % 2 == 0, "a").otherwise("b"))
     m = panel.mark_unsourced(f.select("stock_id", "source", "net"), {"b": ["net"]})
     return panel.json_rows(m.drop("source"))
 
 
-@query("panel_reports_with_facts", f"""{with_('facts')} select id, count(report_id) as n_facts, sum(value)::bigint as total_value from reports left join facts on report_id = id group by 1""")
+@query(
+    "panel_reports_with_facts",
+    f"""{with_('facts')} select id, count(report_id) as n_facts, sum(value)::bigint as total_value from reports left
+    join facts on report_id = id group by 1""",
+)
 def _(spark, d):
     r = reports(spark, d)
     x = panel.reports_with_facts(r, facts(r).withColumn("concept", F.lit("c")))
-    return x.select("id", F.coalesce(F.size("facts"), F.lit(0)).cast("bigint").alias("n_facts"), F.aggregate("facts", F.lit(0).cast("bigint"), lambda a, f: a + f["value"]).alias("total_value"))
+    return x.select(
+        "id",
+        F.coalesce(F.size("facts"), F.lit(0)).cast("bigint").alias("n_facts"),
+        F.aggregate("facts", F.lit(0).cast("bigint"), lambda a, f: a + f["value"]).alias("total_value"),
+    )
 
 
 _CAL = "cal as (select distinct l_shipdate::date as trade_date from lineitem where isodow(l_shipdate) <> 7)"
 
 
 def calendar(spark, d):
-    return table(spark, d, "lineitem").where("dayofweek(l_shipdate) <> 1").select(F.col("l_shipdate").cast("date").alias("trade_date")).distinct()
+    return table(spark, d, "lineitem").where("dayofweek(l_shipdate) <> 1").select(
+        F.col("l_shipdate").cast("date").alias("trade_date")
+    ).distinct()
 
 
-@query("panel_calendar_range", days="trade_date", sql=f"with {_CAL} select trade_date from cal where trade_date between date '1996-02-01' and date '1996-09-30'")
+@query(
+    "panel_calendar_range",
+    days="trade_date",
+    sql=f"""with {_CAL} select trade_date from cal where trade_date between date '1996-02-01' and date '1996-09-30'""",
+)
 def _(spark, d):
     return panel.calendar_range(calendar(spark, d), day("1996-02-01"), day("1996-09-30"))
 
 
-@query("panel_trading_axis", days="trade_date", sql=f"""{with_('bars')}, {_CAL}, e as (select stock_id, source, min(trade_date) as a, max(trade_date) as z from bars group by 1, 2) select stock_id, source, trade_date, true as on_calendar from e join cal on trade_date between a and z
-    union all select stock_id, source, trade_date, false from bars where trade_date not in (select trade_date from cal)""")
+@query(
+    "panel_trading_axis",
+    days="trade_date",
+    sql=f"""{with_('bars')}, {_CAL}, e as (select stock_id, source, min(trade_date) as a, max(trade_date) as z from
+    bars group by 1, 2) select stock_id, source, trade_date, true as on_calendar from e join cal on trade_date between
+    a and z
+    union all select stock_id, source, trade_date, false from bars where trade_date not in (select trade_date from
+    cal)""",
+)
 def _(spark, d):
     return panel.trading_axis(calendar(spark, d), bars(spark, d), SERIES)
 
 
-@query("panel_aligned", days="trade_date", sql=f"""{with_('bars')}, {_CAL}, e as (select stock_id, source, min(trade_date) as a, max(trade_date) as z from bars group by 1, 2), x as (select stock_id, source, trade_date from e join cal on trade_date between a and z union select stock_id, source, trade_date from bars)
-    select x.*, p.close as price_close, v.volume as flow_volume from x left join bars p using (stock_id, source, trade_date) left join (select * from bars where volume % 2 = 0) v using (stock_id, source, trade_date)""")
+@query(
+    "panel_aligned",
+    days="trade_date",
+    sql=f"""{with_('bars')}, {_CAL}, e as (select stock_id, source, min(trade_date) as a, max(trade_date) as z from
+    bars group by 1, 2), x as (select stock_id, source, trade_date from e join cal on trade_date between a and z union
+    select stock_id, source, trade_date from bars)
+    select x.*, p.close as price_close, v.volume as flow_volume from x left join bars p using (stock_id, source,
+    trade_date) left join (select * from bars where volume % 2 = 0) v using (stock_id, source, trade_date)""",
+)
 def _(spark, d):
     b = bars(spark, d)
     axis = panel.trading_axis(calendar(spark, d), b, SERIES).drop("on_calendar")
-    return panel.align(axis, {"price": b.select(*KEY, "close"), "flow": b.where("volume % 2 = 0").select(*KEY, "volume")}, KEY)
-
-
-@query("panel_month_axis", days="month", sql="""with r as (select o_custkey, date_trunc('month', o_orderdate)::date as month, count(*) as n from orders group by 1, 2), e as (select o_custkey, min(month) as a, max(month) as z from r group by 1), x as (select o_custkey, unnest(generate_series(a, z, interval 1 month))::date as month from e) select x.o_custkey, x.month, n from x left join r using (o_custkey, month)""")
-def _(spark, d):
-    r = table(spark, d, "orders").groupBy("o_custkey", F.trunc("o_orderdate", "month").alias("month")).agg(F.count("*").alias("n"))
+    return panel.align(
+        axis, {"price": b.select(*KEY, "close"), "flow": b.where("volume % 2 = 0").select(*KEY, "volume")}, KEY
+    )
+
+
+@query(
+    "panel_month_axis",
+    days="month",
+    sql="""with r as (select o_custkey, date_trunc('month', o_orderdate)::date as month, count(*) as n from orders
+    group by 1, 2), e as (select o_custkey, min(month) as a, max(month) as z from r group by 1), x as (select
+    o_custkey, unnest(generate_series(a, z, interval 1 month))::date as month from e) select x.o_custkey, x.month, n
+    from x left join r using (o_custkey, month)""",
+)
+def _(spark, d):
+    r = table(spark, d, "orders").groupBy(
+        "o_custkey", F.trunc("o_orderdate", "month").alias("month")
+    ).agg(F.count("*").alias("n"))
     return panel.month_axis(r, "o_custkey", "month")
 
 
-@query("panel_latest_indices", days="trade_date", sql=f"{with_('bars')} select source, stock_id as index_name, max(trade_date) as trade_date, arg_max(close, trade_date) as close from bars group by 1, 2")
-def _(spark, d):
-    return panel.latest_indices(bars(spark, d).select("source", F.col("stock_id").alias("index_name"), "trade_date", "close"))
-
-
-@query("panel_default_source", """select l_suppkey::varchar as stock_id, arg_max(l_returnflag, l_shipdate::date::varchar || l_returnflag) as source from lineitem group by 1""")
-def _(spark, d):
-    return panel.default_source(table(spark, d, "lineitem").select(F.col("l_suppkey").cast("string").alias("stock_id"), F.col("l_shipdate").cast("date").alias("trade_date"), F.col("l_returnflag").alias("source")))
-
-
-@query("panel_market_flows", days="trade_date", sql="""select 'feed' as source, ts::date as trade_date, sum(event_id) filter (event_type = 'view')::bigint as view, sum(event_id) filter (event_type = 'click')::bigint as click, sum(event_id) filter (event_type = 'purchase')::bigint as purchase from events where event_type in ('view', 'click', 'purchase') group by 2""")
-def _(spark, d):
-    e = table(spark, d, "events").groupBy(F.lit("feed").alias("source"), F.col("ts").cast("date").alias("trade_date"), F.col("event_type").alias("institution")).agg(F.sum("event_id").alias("net"))
+@query(
+    "panel_latest_indices",
+    days="trade_date",
+    sql=f"""{with_('bars')} select source, stock_id as index_name, max(trade_date) as trade_date, arg_max(close,
+    trade_date) as close from bars group by 1, 2""",
+)
+def _(spark, d):
+    return panel.latest_indices(
+        bars(spark, d).select("source", F.col("stock_id").alias("index_name"), "trade_date", "close")
+    )
+
+
+@query(
+    "panel_default_source",
+    """select l_suppkey::varchar as stock_id, arg_max(l_returnflag, l_shipdate::date::varchar || l_returnflag) as
+    source from lineitem group by 1""",
+)
+def _(spark, d):
+    return panel.default_source(
+        table(spark, d, "lineitem").select(
+            F.col("l_suppkey").cast("string").alias("stock_id"),
+            F.col("l_shipdate").cast("date").alias("trade_date"),
+            F.col("l_returnflag").alias("source"),
+        )
+    )
+
+
+@query(
+    "panel_market_flows",
+    days="trade_date",
+    sql="""select 'feed' as source, ts::date as trade_date, sum(event_id) filter (event_type = 'view')::bigint as
+    view, sum(event_id) filter (event_type = 'click')::bigint as click, sum(event_id) filter (event_type =
+    'purchase')::bigint as purchase from events where event_type in ('view', 'click', 'purchase') group by 2""",
+)
+def _(spark, d):
+    e = table(spark, d, "events").groupBy(
+        F.lit("feed").alias("source"),
+        F.col("ts").cast("date").alias("trade_date"),
+        F.col("event_type").alias("institution"),
+    ).agg(F.sum("event_id").alias("net"))
     return panel.flow_panel(e, ["view", "click", "purchase"], totals=["signup", "error"])
 
 
-@query("panel_distribution_rows", days="snapshot_date", sql=_LEVELS + """ select stock_id, snapshot_date, position, label, holders, shares, percent::double as percent from wide, lateral (""" + " union all ".join(f"select {i} as position, 'L{i}' as label, holders_{i} as holders, shares_{i} as shares, percent_{i} as percent" for i in range(1, 16)) + " union all select 16, 'adjustment', null, adjustment_shares, adjustment_percent union all select 17, 'total', total_holders, total_shares, total_percent) t")
+@query(
+    "panel_distribution_rows",
+    days="snapshot_date",
+    sql=_LEVELS + """ select stock_id, snapshot_date, position, label, holders, shares, percent::double as percent
+    from wide, lateral (""" + " union all ".join(
+        f"""select {i} as position, 'L{i}' as label, holders_{i} as holders, shares_{i} as shares, percent_{i} as
+    percent"""
+        for i in range(1, 16)
+    ) + """ union all select 16, 'adjustment', null, adjustment_shares, adjustment_percent union all select 17,
+    'total', total_holders, total_shares, total_percent) t""",
+)
 def _(spark, d):
     w = long_to_wide_levels(levels(spark, d), ["stock_id", "source", "snapshot_date"])
     return panel.distribution_rows(w, [f"L{i}" for i in range(1, 16)], ["stock_id", "snapshot_date"])
 
 
-@query("panel_report_lines", f"""{_Q}, y as (select report_id, stock_id, report_year, report_quarter, case when period_start = make_date(report_year, 1, 1) then case report_quarter when 4 then 'a' when 1 then 'q' else 'y' end when period_start is null then 'o' else 'q' end as basis, account_code, value, case when report_category = 'consolidated' then '8610' else '8200' end as acc from facts f join reports r on r.id = f.report_id)
-    select report_id, stock_id, report_year, report_quarter, case when min(value) filter (account_code = '9750' and basis = 'q') = max(value) filter (account_code = '9750' and basis = 'q') then max(value) filter (account_code = '9750' and basis = 'q') end::bigint as eps, max(value) filter (account_code = acc and basis = 'q')::bigint as income, false as conflict, report_quarter = 4 as quarter_missing from y group by 1, 2, 3, 4""")
+@query(
+    "panel_report_lines",
+    f"""{_Q}, y as (select report_id, stock_id, report_year, report_quarter, case when period_start =
+    make_date(report_year, 1, 1) then case report_quarter when 4 then 'a' when 1 then 'q' else 'y' end when
+    period_start is null then 'o' else 'q' end as basis, account_code, value, case when report_category =
+    'consolidated' then '8610' else '8200' end as acc from facts f join reports r on r.id = f.report_id)
+    select report_id, stock_id, report_year, report_quarter, case when min(value) filter (account_code = '9750' and
+    basis = 'q') = max(value) filter (account_code = '9750' and basis = 'q') then max(value) filter (account_code =
+    '9750' and basis = 'q') end::bigint as eps, max(value) filter (account_code = acc and basis = 'q')::bigint as
+    income, false as conflict, report_quarter = 4 as quarter_missing from y group by 1, 2, 3, 4""",
+)
 def _(spark, d):
     from tidemark.operators.valuation import period_basis
 
     r = reports(spark, d)
-    f = facts(r).join(r.select(F.col("id").alias("report_id"), "stock_id", "report_year", "report_quarter", "report_category"), "report_id")
+    f = facts(r).join(
+        r.select(F.col("id").alias("report_id"), "stock_id", "report_year", "report_quarter", "report_category"),
+        "report_id",
+    )
     basis = period_basis(F.col("report_year"), F.col("report_quarter"), F.col("period_start"), F.col("period_end"))
-    return panel.report_lines(f, {"eps": {"consolidated": "9750", "individual": "9750"}, "income": {"consolidated": "8610", "individual": "8200"}}, basis, "quarter")
-
-
-@query("panel_cell_states", f"""{with_('flows')} select case when stock_id::int % 3 = 0 then 'unsourced' when net is null then 'empty' else 'value' end as state, count(*) as n from flows group by 1""")
-def _(spark, d):
-    return flows(spark, d).groupBy(panel.cell_state(F.col("net"), F.col("stock_id").cast("int") % 3 == 0).alias("state")).agg(F.count("*").alias("n"))
-
-
-@query("panel_search", """select c_custkey::varchar as stock_id, c_name as name, c_nationkey % 2 = 0 as listed, case when c_custkey::varchar = '12' then 0 when starts_with(c_custkey::varchar, '12') then 1 when contains(c_name, '12') then 2 end as rank from customer where c_custkey::varchar = '12' or starts_with(c_custkey::varchar, '12') or contains(c_name, '12') order by rank, listed desc, stock_id limit 10""")
-def _(spark, d):
-    c = table(spark, d, "customer").select(F.col("c_custkey").cast("string").alias("stock_id"), F.col("c_name").alias("name"), (F.col("c_nationkey") % 2 == 0).alias("listed"))
+    return panel.report_lines(
+        f,
+        {
+            "eps": {"consolidated": "9750", "individual": "9750"},
+            "income": {"consolidated": "8610", "individual": "8200"},
+        },
+        basis,
+        "quarter",
+    )
+
+
+@query(
+    "panel_cell_states",
+    f"""{with_('flows')} select case when stock_id::int % 3 = 0 then 'unsourced' when net is null then 'empty' else
+    'value' end as state, count(*) as n from flows group by 1""",
+)
+def _(spark, d):
+    return flows(spark, d).groupBy(
+        panel.cell_state(F.col("net"), F.col("stock_id").cast("int") % 3 == 0).alias("state")
+    ).agg(F.count("*").alias("n"))
+
+
+@query(
+    "panel_search",
+    """select c_custkey::varchar as stock_id, c_name as name, c_nationkey % 2 = 0 as listed, case when
+    c_custkey::varchar = '12' then 0 when starts_with(c_custkey::varchar, '12') then 1 when contains(c_name, '12')
+    then 2 end as rank from customer where c_custkey::varchar = '12' or starts_with(c_custkey::varchar, '12') or
+    contains(c_name, '12') order by rank, listed desc, stock_id limit 10""",
+)
+def _(spark, d):
+    c = table(spark, d, "customer").select(
+        F.col("c_custkey").cast("string").alias("stock_id"),
+        F.col("c_name").alias("name"),
+        (F.col("c_nationkey") % 2 == 0).alias("listed"),
+    )
     return panel.search(c, "12")
 
 
-@query("panel_price_gaps", f"""{with_('versions')}, l as (select * from versions qualify row_number() over (partition by stock_id, source, trade_date order by recorded_at desc) = 1), r as (select close / nullif(lag(close) over (partition by stock_id, source order by trade_date), 0) as r from l) select count(*) as n_rows, count(*) filter (abs(r - 1) > 0.1) as n_gaps from r""")
+@query(
+    "panel_price_gaps",
+    f"""{with_('versions')}, l as (select * from versions qualify row_number() over (partition by stock_id, source,
+    trade_date order by recorded_at desc) = 1), r as (select close / nullif(lag(close) over (partition by stock_id,
+    source order by trade_date), 0) as r from l) select count(*) as n_rows, count(*) filter (abs(r - 1) > 0.1) as
+    n_gaps from r""",
+)
 def _(spark, d):
     return panel.price_gap_count(versions(spark, d))
 
@@ -321,132 +655,319 @@ def _(spark, d):
 def other_copy(spark, d):
     """The bars as another system might hold them: some days missing, some volumes off, some captured a day late."""
     b = bars(spark, d)
-    return b.where("volume % 37 <> 0").withColumn("volume", F.col("volume") + F.when(F.col("volume") % 11 == 0, 1).otherwise(0))
+    return b.where("volume % 37 <> 0").withColumn(
+        "volume", F.col("volume") + F.when(F.col("volume") % 11 == 0, 1).otherwise(0)
+    )
 
 
-_TWO = f"""{with_('bars')}, theirs as (select stock_id, source, trade_date, close, volume + case when volume % 11 = 0 then 1 else 0 end as volume from bars where volume % 37 <> 0), ours as (select * from bars where volume % 41 <> 0)"""
+_TWO = f"""{with_('bars')}, theirs as (select stock_id, source, trade_date, close, volume + case when volume % 11 = 0
+    then 1 else 0 end as volume from bars where volume % 37 <> 0), ours as (select * from bars where volume % 41 <>
+    0)"""
 
 
-@query("reconcile_key_classes", f"""{_TWO}, k as (select stock_id, source, trade_date, volume % 41 <> 0 as o, volume % 37 <> 0 as t, day(trade_date) <> 3 as oi, day(trade_date) <> 4 as ti from bars)
-    select case when o and t then 'both' when o and not ti then 'ours_only_input_missing_there' when o then 'ours_only_unexplained' when t and not oi then 'theirs_only_input_missing_here' when t then 'theirs_only_unexplained' else 'inputs_only' end as key_class, count(*) as n, sum(case when o then volume_o end)::bigint as ours_volume, sum(case when t then volume_t end)::bigint as theirs_volume
-    from (select k.*, b.volume as volume_o, b.volume + case when b.volume % 11 = 0 then 1 else 0 end as volume_t from k join bars b using (stock_id, source, trade_date)) where o or t or oi or ti group by 1""")
+@query(
+    "reconcile_key_classes",
+    f"""{_TWO}, k as (select stock_id, source, trade_date, volume % 41 <> 0 as o, volume % 37 <> 0 as t,
+    day(trade_date) <> 3 as oi, day(trade_date) <> 4 as ti from bars)
+    select case when o and t then 'both' when o and not ti then 'ours_only_input_missing_there' when o then
+    'ours_only_unexplained' when t and not oi then 'theirs_only_input_missing_here' when t then
+    'theirs_only_unexplained' else 'inputs_only' end as key_class, count(*) as n, sum(case when o then volume_o
+    end)::bigint as ours_volume, sum(case when t then volume_t end)::bigint as theirs_volume
+    from (select k.*, b.volume as volume_o, b.volume + case when b.volume % 11 = 0 then 1 else 0 end as volume_t from
+    k join bars b using (stock_id, source, trade_date)) where o or t or oi or ti group by 1""",
+)
 def _(spark, d):
     b = bars(spark, d)
     v = [*KEY, "volume"]
-    m = reconcile.merge_sides({"ours": b.where("volume % 41 <> 0").select(*v), "our_input": b.where("day(trade_date) <> 3").select(*v), "theirs": other_copy(spark, d).select(*v), "their_input": b.where("day(trade_date) <> 4").select(*v)}, KEY)
-    return reconcile.key_differences(m).groupBy("key_class").agg(F.count("*").alias("n"), F.sum("ours_volume").alias("ours_volume"), F.sum("theirs_volume").alias("theirs_volume"))
-
-
-@query("reconcile_another_date", f"""{_TWO}, x as (select o.volume as a, t.volume as b, n.volume as c from bars o join theirs t using (stock_id, source, trade_date) left join bars n on n.stock_id = o.stock_id and n.source = o.source and n.trade_date = o.trade_date + 1 and day(o.trade_date) % 2 = 0)
-    select case when a = b then 'equal' when b = c then 'captured_another_date' else 'differ' end as diff_class, count(*) as n from x group by 1""")
+    m = reconcile.merge_sides(
+        {
+            "ours": b.where("volume % 41 <> 0").select(*v),
+            "our_input": b.where("day(trade_date) <> 3").select(*v),
+            "theirs": other_copy(spark, d).select(*v),
+            "their_input": b.where("day(trade_date) <> 4").select(*v),
+        },
+        KEY,
+    )
+    return reconcile.key_differences(m).groupBy("key_class").agg(
+        F.count("*").alias("n"),
+        F.sum("ours_volume").alias("ours_volume"),
+        F.sum("theirs_volume").alias("theirs_volume"),
+    )
+
+
+@query(
+    "reconcile_another_date",
+    f"""{_TWO}, x as (select o.volume as a, t.volume as b, n.volume as c from bars o join theirs t using (stock_id,
+    source, trade_date) left join bars n on n.stock_id = o.stock_id and n.source = o.source and n.trade_date =
+    o.trade_date + 1 and day(o.trade_date) % 2 = 0)
+    select case when a = b then 'equal' when b = c then 'captured_another_date' else 'differ' end as diff_class,
+    count(*) as n from x group by 1""",
+)
 def _(spark, d):
     b = bars(spark, d)
-    mapping = b.select("trade_date").distinct().where("day(trade_date) % 2 = 0").withColumn("mapped_date", F.date_add("trade_date", 1))
-    return reconcile.captured_another_date(b, other_copy(spark, d), mapping, SERIES, "volume").groupBy("diff_class").agg(F.count("*").alias("n"))
-
-
-@query("reconcile_top_and_samples", f"""{_TWO}, x as (select o.stock_id, o.source, o.trade_date from bars o join theirs t using (stock_id, source, trade_date) where o.volume <> t.volume), s as (select *, row_number() over (partition by source order by stock_id, trade_date) as r from x),
-    top as (select source, year(trade_date) as y, count(*) as n from x group by 1, 2 order by n desc, source, y limit 20)
-    select 'sample' as kind, source, stock_id || ' ' || trade_date::varchar as item, 1::bigint as n from s where r <= 10 union all select 'top', source, y::varchar, n from top""")
+    mapping = b.select("trade_date").distinct().where("day(trade_date) % 2 = 0").withColumn(
+        "mapped_date", F.date_add("trade_date", 1)
+    )
+    return reconcile.captured_another_date(
+        b, other_copy(spark, d), mapping, SERIES, "volume"
+    ).groupBy("diff_class").agg(F.count("*").alias("n"))
+
+
+@query(
+    "reconcile_top_and_samples",
+    f"""{_TWO}, x as (select o.stock_id, o.source, o.trade_date from bars o join theirs t using (stock_id, source,
+    trade_date) where o.volume <> t.volume), s as (select *, row_number() over (partition by source order by stock_id,
+    trade_date) as r from x),
+    top as (select source, year(trade_date) as y, count(*) as n from x group by 1, 2 order by n desc, source, y limit
+    20)
+    select 'sample' as kind, source, stock_id || ' ' || trade_date::varchar as item, 1::bigint as n from s where r <=
+    10 union all select 'top', source, y::varchar, n from top""",
+)
 def _(spark, d):
     o, t = bars(spark, d), other_copy(spark, d).select(*KEY, F.col("volume").alias("v"))
     x = o.join(t, KEY).where("volume <> v").select(*KEY)
-    s = reconcile.samples(x, "source", ["stock_id", "trade_date"]).select(F.lit("sample").alias("kind"), "source", F.concat_ws(" ", "stock_id", F.col("trade_date").cast("string")).alias("item"), F.lit(1).cast("bigint").alias("n"))
-    top = reconcile.top_counts(x.withColumn("y", F.year("trade_date")), ["source", "y"]).select(F.lit("top").alias("kind"), "source", F.col("y").cast("string").alias("item"), "n")
+    s = reconcile.samples(x, "source", ["stock_id", "trade_date"]).select(
+        F.lit("sample").alias("kind"),
+        "source",
+        F.concat_ws(" ", "stock_id", F.col("trade_date").cast("string")).alias("item"),
+        F.lit(1).cast("bigint").alias("n"),
+    )
+    top = reconcile.top_counts(x.withColumn("y", F.year("trade_date")), ["source", "y"]).select(
+        F.lit("top").alias("kind"), "source", F.col("y").cast("string").alias("item"), "n"
+    )
     return s.unionByName(top)
 
 
-@query("reconcile_drift", f"""{with_('flows')}, x as (select stock_id, source, trade_date, coalesce(net, 0) as a, coalesce(net, 0) + case when stock_id::int % 4 = 0 and day(trade_date) = 9 then 500 else 0 end as b from flows),
-    y as (select *, sum(a) over w as sa, sum(b) over w + case when stock_id::int % 10 = 1 then 7 else 0 end as sb, sum(a - b) over w as drift from x window w as (partition by stock_id, source order by trade_date rows unbounded preceding))
-    select case when sa = sb then 'equal' when sa - sb = drift then 'explained_by_net_drift' else 'unexplained' end as diff_class, count(*) as n, sum(drift)::bigint as drift from y group by 1""")
+@query(
+    "reconcile_drift",
+    f"""{with_('flows')}, x as (select stock_id, source, trade_date, coalesce(net, 0) as a, coalesce(net, 0) + case
+    when stock_id::int % 4 = 0 and day(trade_date) = 9 then 500 else 0 end as b from flows),
+    y as (select *, sum(a) over w as sa, sum(b) over w + case when stock_id::int % 10 = 1 then 7 else 0 end as sb,
+    sum(a - b) over w as drift from x window w as (partition by stock_id, source order by trade_date rows unbounded
+    preceding))
+    select case when sa = sb then 'equal' when sa - sb = drift then 'explained_by_net_drift' else 'unexplained' end as
+    diff_class, count(*) as n, sum(drift)::bigint as drift from y group by 1""",
+)
 def _(spark, d):
     f = flows(spark, d).select(*KEY, F.coalesce("net", F.lit(0)).alias("a"))
-    f = f.withColumn("b", F.col("a") + F.when((F.col("stock_id").cast("int") % 4 == 0) & (F.dayofmonth("trade_date") == 9), 500).otherwise(0))
-    s = metrics.cumulative_flow(metrics.cumulative_flow(f, "a", out="sa"), "b", out="sb").withColumn("sb", F.col("sb") + F.when(F.col("stock_id").cast("int") % 10 == 1, 7).otherwise(0))
-    return reconcile.cumulative_drift(s, "a", "b", "sa", "sb").groupBy("diff_class").agg(F.count("*").alias("n"), F.sum("drift").alias("drift"))
-
-
-@query("reconcile_ratios", f"""{with_('flows')} select case when n_events % 5 <> 0 then 'equal' when day(trade_date) = 9 then 'known_date' when volume = 0 then 'issued_shares_missing' else 'unexplained' end as diff_class, count(*) as n from flows group by 1""")
-def _(spark, d):
-    f = flows(spark, d).select("trade_date", (F.col("n_events") / 7.0).alias("a"), (F.col("n_events") / 7.0 + F.when(F.col("n_events") % 5 == 0, 1).otherwise(0)).alias("b"), F.nullif("volume", F.lit(0)).alias("issued"))
+    f = f.withColumn(
+        "b",
+        F.col("a")
+        + F.when((F.col("stock_id").cast("int") % 4 == 0) & (F.dayofmonth("trade_date") == 9), 500).otherwise(0),
+    )
+    s = metrics.cumulative_flow(metrics.cumulative_flow(f, "a", out="sa"), "b", out="sb").withColumn(
+        "sb", F.col("sb") + F.when(F.col("stock_id").cast("int") % 10 == 1, 7).otherwise(0)
+    )
+    return reconcile.cumulative_drift(s, "a", "b", "sa", "sb").groupBy("diff_class").agg(
+        F.count("*").alias("n"), F.sum("drift").alias("drift")
+    )
+
+
+@query(
+    "reconcile_ratios",
+    f"""{with_('flows')} select case when n_events % 5 <> 0 then 'equal' when day(trade_date) = 9 then 'known_date'
+    when volume = 0 then 'issued_shares_missing' else 'unexplained' end as diff_class, count(*) as n from flows group
+    by 1""",
+)
+def _(spark, d):
+    f = flows(spark, d).select(
+        "trade_date",
+        (F.col("n_events") / 7.0).alias("a"),
+        (F.col("n_events") / 7.0 + F.when(F.col("n_events") % 5 == 0, 1).otherwise(0)).alias("b"),
+        F.nullif("volume", F.lit(0)).alias("issued"),
+    )
     known = f.where("day(trade_date) = 9").select("trade_date")
     return reconcile.ratio_classes(f, known, "a", "b", "issued").groupBy("diff_class").agg(F.count("*").alias("n"))
 
 
-_AXIS = f"""{with_('flows')}, x as (select stock_id, source, trade_date, coalesce(sign(net), 0) as a, case when day(trade_date) = 9 then 0 else coalesce(sign(net), 0) end as b, true as o, day(trade_date) % 8 <> 5 as t, row_number() over (partition by stock_id, source order by trade_date) as i from flows),
-    oa as (select *, row_number() over (partition by stock_id, source, g order by trade_date) * a as k from (select *, sum(c) over (partition by stock_id, source order by trade_date) as g from (select *, case when a <> coalesce(lag(a) over (partition by stock_id, source order by trade_date), 9) then 1 else 0 end as c from x))),
-    tb as (select *, row_number() over (partition by stock_id, source, g order by trade_date) * b as k from (select *, sum(c) over (partition by stock_id, source order by trade_date) as g from (select *, case when b <> coalesce(lag(b) over (partition by stock_id, source order by trade_date), 9) then 1 else 0 end as c from x where t)))"""
-
-
-@query("reconcile_streaks", f"""{_AXIS}, d as (select oa.stock_id, oa.source, oa.i, greatest(abs(oa.k), abs(tb.k)) as reach from oa join tb using (stock_id, source, trade_date) where oa.k <> tb.k)
-    select case when exists (select 1 from x where x.stock_id = d.stock_id and x.source = d.source and x.i between d.i - reach and d.i and not t) then 'day_sets_differ' when exists (select 1 from x where x.stock_id = d.stock_id and x.source = d.source and x.i between d.i - reach and d.i and a <> b) then 'net_sign_differs' else 'unexplained' end as diff_class, count(*) as n from d group by 1""")
+_AXIS = f"""{with_('flows')}, x as (select stock_id, source, trade_date, coalesce(sign(net), 0) as a, case when
+    day(trade_date) = 9 then 0 else coalesce(sign(net), 0) end as b, true as o, day(trade_date) % 8 <> 5 as t,
+    row_number() over (partition by stock_id, source order by trade_date) as i from flows),
+    oa as (select *, row_number() over (partition by stock_id, source, g order by trade_date) * a as k from (select *,
+    sum(c) over (partition by stock_id, source order by trade_date) as g from (select *, case when a <>
+    coalesce(lag(a) over (partition by stock_id, source order by trade_date), 9) then 1 else 0 end as c from x))),
+    tb as (select *, row_number() over (partition by stock_id, source, g order by trade_date) * b as k from (select *,
+    sum(c) over (partition by stock_id, source order by trade_date) as g from (select *, case when b <>
+    coalesce(lag(b) over (partition by stock_id, source order by trade_date), 9) then 1 else 0 end as c from x where
+    t)))"""
+
+
+@query(
+    "reconcile_streaks",
+    f"""{_AXIS}, d as (select oa.stock_id, oa.source, oa.i, greatest(abs(oa.k), abs(tb.k)) as reach from oa join tb
+    using (stock_id, source, trade_date) where oa.k <> tb.k)
+    select case when exists (select 1 from x where x.stock_id = d.stock_id and x.source = d.source and x.i between d.i
+    - reach and d.i and not t) then 'day_sets_differ' when exists (select 1 from x where x.stock_id = d.stock_id and
+    x.source = d.source and x.i between d.i - reach and d.i and a <> b) then 'net_sign_differs' else 'unexplained' end
+    as diff_class, count(*) as n from d group by 1""",
+)
 def _(spark, d):
     f = flows(spark, d).select(*KEY, F.coalesce(F.signum(F.col("net").cast("double")), F.lit(0.0)).alias("a"))
-    f = f.withColumn("b", F.when(F.dayofmonth("trade_date") == 9, 0.0).otherwise(F.col("a"))).withColumn("t", F.dayofmonth("trade_date") % 8 != 5)
+    f = f.withColumn("b", F.when(F.dayofmonth("trade_date") == 9, 0.0).otherwise(F.col("a"))).withColumn(
+        "t", F.dayofmonth("trade_date") % 8 != 5
+    )
     mine = metrics.streaks(f, ["a"]).select(*KEY, F.col("a_streak_days").alias("ours_streak"))
     their = metrics.streaks(f.where("t"), ["b"]).select(*KEY, F.col("b_streak_days").alias("theirs_streak"))
-    axis = f.join(mine, KEY).join(their, KEY, "left").withColumns({"in_ours": F.lit(True), "in_theirs": F.col("t"), "ours_sign": F.col("a"), "theirs_sign": F.col("b")})
+    axis = f.join(mine, KEY).join(their, KEY, "left").withColumns(
+        {"in_ours": F.lit(True), "in_theirs": F.col("t"), "ours_sign": F.col("a"), "theirs_sign": F.col("b")}
+    )
     return reconcile.streak_classes(axis).groupBy("diff_class").agg(F.count("*").alias("n"))
 
 
-@query("reconcile_indicators", f"""{with_('bars')}, i as (select *, row_number() over (partition by stock_id, source order by trade_date) as i, volume % 97 = 0 as dr, day(trade_date) = 13 as fr from bars),
-    f as (select *, max(case when dr then i end) over w as ld, max(case when fr then i end) over w as lf from i window w as (partition by stock_id, source order by trade_date rows unbounded preceding)), m as (select f.*, metric, len, case when volume % 3 = 0 then 0.0000001 when volume % 3 = 1 then 0.01 else 5 end as gap from f, (values ('ma5', 5), ('vma20', 20), ('macd_dif', null)) t(metric, len))
-    select metric, case when stock_id::int % 50 = 1 then 'market_transfer' when ld is not null and (len is null or i - ld < len) then 'dropped_no_trade_days' when metric = 'vma20' and lf is not null and i - lf < 20 then 'frozen_volume' else 'unexplained' end as diff_class, case when gap < 1e-6 then 'below_1e-6' when gap < 1 then 'below_1' else 'at_or_above_1' end as magnitude, count(*) as n from m group by 1, 2, 3""")
+@query(
+    "reconcile_indicators",
+    f"""{with_('bars')}, i as (select *, row_number() over (partition by stock_id, source order by trade_date) as i,
+    volume % 97 = 0 as dr, day(trade_date) = 13 as fr from bars),
+    f as (select *, max(case when dr then i end) over w as ld, max(case when fr then i end) over w as lf from i window
+    w as (partition by stock_id, source order by trade_date rows unbounded preceding)), m as (select f.*, metric, len,
+    case when volume % 3 = 0 then 0.0000001 when volume % 3 = 1 then 0.01 else 5 end as gap from f, (values ('ma5',
+    5), ('vma20', 20), ('macd_dif', null)) t(metric, len))
+    select metric, case when stock_id::int % 50 = 1 then 'market_transfer' when ld is not null and (len is null or i -
+    ld < len) then 'dropped_no_trade_days' when metric = 'vma20' and lf is not null and i - lf < 20 then
+    'frozen_volume' else 'unexplained' end as diff_class, case when gap < 1e-6 then 'below_1e-6' when gap < 1 then
+    'below_1' else 'at_or_above_1' end as magnitude, count(*) as n from m group by 1, 2, 3""",
+)
 def _(spark, d):
     b = bars(spark, d)
-    axis = b.select(*KEY, (F.col("volume") % 97 == 0).alias("dropped"), (F.dayofmonth("trade_date") == 13).alias("frozen"))
+    axis = b.select(
+        *KEY, (F.col("volume") % 97 == 0).alias("dropped"), (F.dayofmonth("trade_date") == 13).alias("frozen")
+    )
     gap = F.when(F.col("volume") % 3 == 0, 1e-7).when(F.col("volume") % 3 == 1, 0.01).otherwise(5.0)
-    diff = b.select(*KEY, F.explode(F.array(F.lit("ma5"), F.lit("vma20"), F.lit("macd_dif"))).alias("metric"), F.lit(0.0).alias("ours"), gap.alias("theirs"))
+    diff = b.select(
+        *KEY,
+        F.explode(F.array(F.lit("ma5"), F.lit("vma20"), F.lit("macd_dif"))).alias("metric"),
+        F.lit(0.0).alias("ours"),
+        gap.alias("theirs"),
+    )
     transfers = b.where("cast(stock_id as int) % 50 = 1").select("stock_id")
-    return reconcile.indicator_classes(diff, axis, {"ma5": 5, "vma20": 20}, transfers).groupBy("metric", "diff_class", "magnitude").agg(F.count("*").alias("n"))
-
-
-@query("reconcile_rebased_changes", days="snapshot_date", sql="""with o as (select l_suppkey::varchar as stock_id, 'weekly' as source, date_trunc('month', l_shipdate)::date as snapshot_date, sum(l_quantity::bigint)::bigint as v from lineitem group by 1, 2, 3), t as (select * from o where v % 5 <> 0), tt as (select *, lag(snapshot_date) over w as p, v - lag(v) over w as c from t window w as (partition by stock_id order by snapshot_date)), oo as (select *, v - lag(v) over (partition by stock_id order by snapshot_date) as c from o)
-    select oo.stock_id, oo.source, oo.snapshot_date, oo.c as our_change, tt.c as their_change, oo.v - x.v as rebased_change from oo join tt using (stock_id, snapshot_date) left join o x on x.stock_id = tt.stock_id and x.snapshot_date = tt.p""")
-def _(spark, d):
-    o = table(spark, d, "lineitem").groupBy(F.col("l_suppkey").cast("string").alias("stock_id"), F.lit("weekly").alias("source"), F.trunc("l_shipdate", "month").alias("snapshot_date")).agg(F.sum(F.col("l_quantity").cast("bigint")).alias("v"))
+    return reconcile.indicator_classes(diff, axis, {"ma5": 5, "vma20": 20}, transfers).groupBy(
+        "metric", "diff_class", "magnitude"
+    ).agg(
+        F.count("*").alias("n")
+    )
+
+
+@query(
+    "reconcile_rebased_changes",
+    days="snapshot_date",
+    sql="""with o as (select l_suppkey::varchar as stock_id, 'weekly' as source, date_trunc('month', l_shipdate)::date
+    as snapshot_date, sum(l_quantity::bigint)::bigint as v from lineitem group by 1, 2, 3), t as (select * from o
+    where v % 5 <> 0), tt as (select *, lag(snapshot_date) over w as p, v - lag(v) over w as c from t window w as
+    (partition by stock_id order by snapshot_date)), oo as (select *, v - lag(v) over (partition by stock_id order by
+    snapshot_date) as c from o)
+    select oo.stock_id, oo.source, oo.snapshot_date, oo.c as our_change, tt.c as their_change, oo.v - x.v as
+    rebased_change from oo join tt using (stock_id, snapshot_date) left join o x on x.stock_id = tt.stock_id and
+    x.snapshot_date = tt.p""",
+)
+def _(spark, d):
+    o = table(spark, d, "lineitem").groupBy(
+        F.col("l_suppkey").cast("string").alias("stock_id"),
+        F.lit("weekly").alias("source"),
+        F.trunc("l_shipdate", "month").alias("snapshot_date"),
+    ).agg(F.sum(F.col("l_quantity").cast("bigint")).alias("v"))
     return reconcile.rebased_change(o, o.where("v % 5 <> 0"), "v")
 
 
-@query("reconcile_valuation", f"""{_TWO} select case when volume % 37 = 0 and volume % 41 <> 0 then 'ours_only' when volume % 41 = 0 and volume % 37 <> 0 then 'theirs_only' when volume % 11 <> 0 then 'equal' when volume % 2 = 0 then 'publication_date' else 'unexplained' end as diff_class, count(*) as n from bars where not (volume % 37 = 0 and volume % 41 = 0) group by 1""")
+@query(
+    "reconcile_valuation",
+    f"""{_TWO} select case when volume % 37 = 0 and volume % 41 <> 0 then 'ours_only' when volume % 41 = 0 and volume
+    % 37 <> 0 then 'theirs_only' when volume % 11 <> 0 then 'equal' when volume % 2 = 0 then 'publication_date' else
+    'unexplained' end as diff_class, count(*) as n from bars where not (volume % 37 = 0 and volume % 41 = 0) group by
+    1""",
+)
 def _(spark, d):
     b = bars(spark, d)
-    alternative = b.withColumn("volume", F.when(F.col("volume") % 2 == 0, F.col("volume") + 1).otherwise(F.col("volume")))
-    return reconcile.valuation_classes(b.where("volume % 41 <> 0"), other_copy(spark, d), alternative, KEY, "volume").groupBy("diff_class").agg(F.count("*").alias("n"))
-
-
-_GAPS = f"""{with_('bars', 'actions')}, cal as (select trade_date, row_number() over (order by trade_date) as s from (select distinct trade_date from bars)), ev as (select distinct stock_id, source, ex_date from actions where o_orderpriority = '1-URGENT'), sp as (select distinct stock_id, date '1996-01-02' as listed_on from bars where stock_id::int % 3 = 0 and exists (select 1 from cal where trade_date = date '1996-01-02')),
-    p as (select *, lag(trade_date) over w as pd, lag(close) over w as pc, min(trade_date) over (partition by stock_id, source) as f from bars window w as (partition by stock_id, source order by trade_date)),
-    g as (select p.*, c.s - c2.s as k, close / pc as r, c.s - cf.s + 1 as since_first, case when listed_on <= p.trade_date then c.s - cl.s + 1 end as since_listed, case when listed_on <= p.trade_date then listed_on end as lo, exists (select 1 from ev where ev.stock_id = p.stock_id and ev.source = p.source and ex_date > pd and ex_date <= p.trade_date) as e
-        from p join cal c on c.trade_date = p.trade_date join cal c2 on c2.trade_date = pd join cal cf on cf.trade_date = f left join sp on sp.stock_id = p.stock_id left join cal cl on cl.trade_date = listed_on where pc <> 0),
-    h as (select *, case when coalesce(since_listed <= 5, false) then 'new_listing' when f > date '1995-01-03' and since_first <= 5 and not coalesce(lo >= f, false) then 'series_start' end as dt from g where r > pow(1.1::double, k) + 1e-9 or r < pow(0.9::double, k) - 1e-9)"""
-
-
-@query("reconcile_gap_classes", f"""{_GAPS} select case when dt is not null then 'explained_by_other_documented_market_event' when e then 'explained_by_corporate_action' else 'unexplained_anomaly' end as reason, coalesce(dt, case when e then 'corporate_action' end) as detail, count(*) as n, sum(k)::bigint as sessions from h group by 1, 2""")
+    alternative = b.withColumn(
+        "volume", F.when(F.col("volume") % 2 == 0, F.col("volume") + 1).otherwise(F.col("volume"))
+    )
+    return reconcile.valuation_classes(
+        b.where("volume % 41 <> 0"), other_copy(spark, d), alternative, KEY, "volume"
+    ).groupBy("diff_class").agg(F.count("*").alias("n"))
+
+
+_GAPS = f"""{with_('bars', 'actions')}, cal as (select trade_date, row_number() over (order by trade_date) as s from
+    (select distinct trade_date from bars)), ev as (select distinct stock_id, source, ex_date from actions where
+    o_orderpriority = '1-URGENT'), sp as (select distinct stock_id, date '1996-01-02' as listed_on from bars where
+    stock_id::int % 3 = 0 and exists (select 1 from cal where trade_date = date '1996-01-02')),
+    p as (select *, lag(trade_date) over w as pd, lag(close) over w as pc, min(trade_date) over (partition by
+    stock_id, source) as f from bars window w as (partition by stock_id, source order by trade_date)),
+    g as (select p.*, c.s - c2.s as k, close / pc as r, c.s - cf.s + 1 as since_first, case when listed_on <=
+    p.trade_date then c.s - cl.s + 1 end as since_listed, case when listed_on <= p.trade_date then listed_on end as
+    lo, exists (select 1 from ev where ev.stock_id = p.stock_id and ev.source = p.source and ex_date > pd and ex_date
+    <= p.trade_date) as e
+        from p join cal c on c.trade_date = p.trade_date join cal c2 on c2.trade_date = pd join cal cf on
+        cf.trade_date = f left join sp on sp.stock_id = p.stock_id left join cal cl on cl.trade_date = listed_on where
+        pc <> 0),
+    h as (select *, case when coalesce(since_listed <= 5, false) then 'new_listing' when f > date '1995-01-03' and
+    since_first <= 5 and not coalesce(lo >= f, false) then 'series_start' end as dt from g where r > pow(1.1::double,
+    k) + 1e-9 or r < pow(0.9::double, k) - 1e-9)"""
+
+
+@query(
+    "reconcile_gap_classes",
+    f"""{_GAPS} select case when dt is not null then 'explained_by_other_documented_market_event' when e then
+    'explained_by_corporate_action' else 'unexplained_anomaly' end as reason, coalesce(dt, case when e then
+    'corporate_action' end) as detail, count(*) as n, sum(k)::bigint as sessions from h group by 1, 2""",
+)
 def _(spark, d):
     b = bars(spark, d)
-    sp = b.where("cast(stock_id as int) % 3 = 0").select("stock_id").distinct().withColumn("listed_on", day("1996-01-02"))
+    sp = b.where("cast(stock_id as int) % 3 = 0").select("stock_id").distinct().withColumn(
+        "listed_on", day("1996-01-02")
+    )
     cal = b.select("trade_date").distinct()
-    sp = sp.join(cal.where("trade_date = date'1996-01-02'").select(F.col("trade_date").alias("listed_on")), "listed_on", "left_semi")
+    sp = sp.join(
+        cal.where("trade_date = date'1996-01-02'").select(F.col("trade_date").alias("listed_on")),
+        "listed_on",
+        "left_semi",
+    )
     x = reconcile.classify_gaps(b, events_by_stock(spark, d), cal, sp, day("1995-01-03"))
     return x.groupBy("reason", "detail").agg(F.count("*").alias("n"), F.sum("sessions").alias("sessions"))
 
 
-@query("reconcile_event_continuity", days="ex_date", sql=f"""{with_('bars', 'actions')}, ev as (select * from actions where o_orderpriority = '1-URGENT') select e.stock_id, e.source, e.ex_date, e.close_before::double as close_before, b.close as previous_close, coalesce(e.close_before::double = b.close, false) as continuous from ev e asof left join bars b on b.stock_id = e.stock_id and b.source = e.source and e.ex_date > b.trade_date""")
+@query(
+    "reconcile_event_continuity",
+    days="ex_date",
+    sql=f"""{with_('bars', 'actions')}, ev as (select * from actions where o_orderpriority = '1-URGENT') select
+    e.stock_id, e.source, e.ex_date, e.close_before::double as close_before, b.close as previous_close,
+    coalesce(e.close_before::double = b.close, false) as continuous from ev e asof left join bars b on b.stock_id =
+    e.stock_id and b.source = e.source and e.ex_date > b.trade_date""",
+)
 def _(spark, d):
     return reconcile.event_continuity(events_by_stock(spark, d), bars(spark, d))
 
 
-@query("reconcile_table_equality", f"""{_TWO}, a as (select stock_id, source, volume from ours), b as (select stock_id, source, volume from theirs) select 'first' as side, count(*) as n, sum(volume)::bigint as v from (select * from a except all select * from b) union all select 'second', count(*), sum(volume)::bigint from (select * from b except all select * from a)""")
+@query(
+    "reconcile_table_equality",
+    f"""{_TWO}, a as (select stock_id, source, volume from ours), b as (select stock_id, source, volume from theirs)
+    select 'first' as side, count(*) as n, sum(volume)::bigint as v from (select * from a except all select * from b)
+    union all select 'second', count(*), sum(volume)::bigint from (select * from b except all select * from a)""",
+)
 def _(spark, d):
     c = ["stock_id", "source", "volume"]
-    return reconcile.table_differences(bars(spark, d).where("volume % 41 <> 0").select(*c), other_copy(spark, d).select(*c)).groupBy("side").agg(F.count("*").alias("n"), F.sum("volume").alias("v"))
-
-
-@query("reconcile_version_changes", days="trade_date", sql=f"""{with_('versions')}, x as (select *, lag(volume) over w as ov, lag(close) over w as oc from versions window w as (partition by stock_id, source, trade_date order by recorded_at)) select stock_id, source, trade_date, recorded_at, (case when ov <> volume then 1 else 0 end + case when oc <> close then 1 else 0 end)::int as n_changed, case when ov <> volume then ov::varchar || ' -> ' || volume::varchar end as volume_change from x where ov is not null""")
+    return reconcile.table_differences(
+        bars(spark, d).where("volume % 41 <> 0").select(*c), other_copy(spark, d).select(*c)
+    ).groupBy("side").agg(
+        F.count("*").alias("n"), F.sum("volume").alias("v")
+    )
+
+
+@query(
+    "reconcile_version_changes",
+    days="trade_date",
+    sql=f"""{with_('versions')}, x as (select *, lag(volume) over w as ov, lag(close) over w as oc from versions
+    window w as (partition by stock_id, source, trade_date order by recorded_at)) select stock_id, source, trade_date,
+    recorded_at, (case when ov <> volume then 1 else 0 end + case when oc <> close then 1 else 0 end)::int as
+    n_changed, case when ov <> volume then ov::varchar || ' -> ' || volume::varchar end as volume_change from x where
+    ov is not null""",
+)
 def _(spark, d):
     x = reconcile.version_changes(versions(spark, d), KEY, ["volume", "close"])
-    return x.select(*KEY, "recorded_at", F.size("changes").alias("n_changed"), F.try_element_at("changes", F.lit("volume")).alias("volume_change"))
+    return x.select(
+        *KEY,
+        "recorded_at",
+        F.size("changes").alias("n_changed"),
+        F.try_element_at("changes", F.lit("volume")).alias("volume_change"),
+    )
 
 
 @query("reconcile_idempotence", """select 0::bigint as appended""")

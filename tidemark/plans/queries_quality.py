@@ -19,65 +19,137 @@ def orders(spark, d):
     return table(spark, d, "orders")
 
 
-@query("fn_roc_dates", days="parsed", sql="""select o_orderkey, case when o_orderkey % 6 = 5 then null else o_orderdate::date end as parsed from orders""")
+@query(
+    "fn_roc_dates",
+    days="parsed",
+    sql="""select o_orderkey, case when o_orderkey % 6 = 5 then null else o_orderdate::date end as parsed from orders""",
+)
 def _(spark, d):
     o = orders(spark, d)
     y = (F.year("o_orderdate") - 1911).cast("string")
-    m, dd = F.lpad(F.month("o_orderdate").cast("string"), 2, "0"), F.lpad(F.dayofmonth("o_orderdate").cast("string"), 2, "0")
+    m, dd = F.lpad(F.month("o_orderdate").cast("string"), 2, "0"), F.lpad(
+        F.dayofmonth("o_orderdate").cast("string"), 2, "0"
+    )
     k = F.col("o_orderkey") % 6
-    text = F.when(k == 0, F.concat_ws("/", y, m, dd)).when(k == 1, F.concat(F.lpad(y, 3, "0"), m, dd)).when(k == 2, F.concat(y, F.lit("年"), m, F.lit("月"), dd, F.lit("日"))).when(k == 3, F.concat_ws(".", y, m, dd)).when(k == 4, F.concat_ws("-", y, m, dd)).otherwise(F.concat(y, F.lit("/13/40")))
+    text = F.when(k == 0, F.concat_ws("/", y, m, dd)).when(k == 1, F.concat(F.lpad(y, 3, "0"), m, dd)).when(
+        k == 2, F.concat(y, F.lit("年"), m, F.lit("月"), dd, F.lit("日"))
+    ).when(k == 3, F.concat_ws(".", y, m, dd)).when(k == 4, F.concat_ws("-", y, m, dd)).otherwise(
+        F.concat(y, F.lit("/13/40"))
+    )
     return o.select("o_orderkey", scalar.roc_date(text).alias("parsed"))
 
 
-@query("fn_numbers", """select o_orderkey, case when o_orderkey % 7 < 5 then floor(o_totalprice)::double end as value, o_orderkey % 7 = 6 as bad, case when o_orderkey % 7 < 5 then 1000 * floor(o_totalprice)::double end as shares from orders""")
+@query(
+    "fn_numbers",
+    """select o_orderkey, case when o_orderkey % 7 < 5 then floor(o_totalprice)::double end as value, o_orderkey % 7 =
+    6 as bad, case when o_orderkey % 7 < 5 then 1000 * floor(o_totalprice)::double end as shares from orders""",
+)
 def _(spark, d):
     o = orders(spark, d)
     n = F.format_number(F.floor("o_totalprice"), 0)
     k = F.col("o_orderkey") % 7
-    text = F.when(k < 4, n).when(k == 4, F.concat(F.lit("<p style='color:red'>"), n, F.lit("</p>"))).when(k == 5, "--").otherwise("n.m.")
+    text = F.when(k < 4, n).when(
+        k == 4, F.concat(F.lit("<p style='color:red'>"), n, F.lit("</p>"))
+    ).when(k == 5, "--").otherwise("n.m.")
     parsed = o.select("o_orderkey", scalar.number(text).alias("p"))
-    return parsed.select("o_orderkey", F.col("p.value").cast("double").alias("value"), F.col("p.bad").alias("bad"), scalar.to_base_unit(F.col("p.value"), F.lit("lot")).cast("double").alias("shares"))
+    return parsed.select(
+        "o_orderkey",
+        F.col("p.value").cast("double").alias("value"),
+        F.col("p.bad").alias("bad"),
+        scalar.to_base_unit(F.col("p.value"), F.lit("lot")).cast("double").alias("shares"),
+    )
 
 
-@query("fn_signed_change", """with x as (select o_orderkey, o_orderkey % 6 as k, case when o_orderkey % 6 in (3, 4) then 0 else o_orderkey % 50 + 1 end as m from orders)
-    select o_orderkey, case k when 0 then m when 1 then -m when 3 then 0 when 4 then null when 5 then null end::double as change, case k when 0 then '+' when 1 then '-' when 2 then 'X' when 3 then 'flat' end as direction, k in (4, 5) as bad,
-    case when k = 2 then 'unmatched' when k in (3, 4, 5) then 'flat' when k = 0 then 'up' else 'down' end as movement from x""")
+@query(
+    "fn_signed_change",
+    """with x as (select o_orderkey, o_orderkey % 6 as k, case when o_orderkey % 6 in (3, 4) then 0 else o_orderkey %
+    50 + 1 end as m from orders)
+    select o_orderkey, case k when 0 then m when 1 then -m when 3 then 0 when 4 then null when 5 then null end::double
+    as change, case k when 0 then '+' when 1 then '-' when 2 then 'X' when 3 then 'flat' end as direction, k in (4, 5)
+    as bad,
+    case when k = 2 then 'unmatched' when k in (3, 4, 5) then 'flat' when k = 0 then 'up' else 'down' end as movement
+    from x""",
+)
 def _(spark, d):
     k = F.col("o_orderkey") % 6
     sign = F.when(k == 0, "+").when(k == 1, "-").when(k == 2, "X").when(k == 3, " ").when(k == 4, "?").otherwise("")
     m = F.when(k.isin(3, 4), 0).otherwise(F.col("o_orderkey") % 50 + 1)
     x = orders(spark, d).select("o_orderkey", scalar.signed_change(sign, m).alias("c"))
-    return x.select("o_orderkey", F.col("c.change").cast("double").alias("change"), "c.direction", "c.bad", scalar.movement(F.col("c.change"), F.col("c.direction")).alias("movement"))
+    return x.select(
+        "o_orderkey",
+        F.col("c.change").cast("double").alias("change"),
+        "c.direction",
+        "c.bad",
+        scalar.movement(F.col("c.change"), F.col("c.direction")).alias("movement"),
+    )
 
 
-@query("fn_lot_sizes", days="trade_date", sql=f"""{with_('bars')} select stock_id, source, trade_date, case when stock_id::int % 10 <> 3 then volume * 1000 when trade_date between date '1996-01-01' and date '1998-12-31' then volume * 500 end as shares,
-    stock_id::int % 10 = 3 and not trade_date between date '1996-01-01' and date '1998-12-31' as lot_violation from bars""")
+@query(
+    "fn_lot_sizes",
+    days="trade_date",
+    sql=f"""{with_('bars')} select stock_id, source, trade_date, case when stock_id::int % 10 <> 3 then volume * 1000
+    when trade_date between date '1996-01-01' and date '1998-12-31' then volume * 500 end as shares,
+    stock_id::int % 10 = 3 and not trade_date between date '1996-01-01' and date '1998-12-31' as lot_violation from
+    bars""",
+)
 def _(spark, d):
-    ex = bars(spark, d).where("cast(stock_id as int) % 10 = 3").select(F.col("stock_id").alias("code")).distinct().select("code", F.lit("1996-01-01").cast("date").alias("valid_from"), F.lit("1998-12-31").cast("date").alias("valid_to"), F.lit(500).alias("lot_size"))
-    return scalar.apply_lot_sizes(bars(spark, d), ex, "stock_id", "trade_date", "volume").select(*KEY, "shares", "lot_violation")
+    ex = bars(spark, d).where("cast(stock_id as int) % 10 = 3").select(
+        F.col("stock_id").alias("code")
+    ).distinct().select(
+        "code",
+        F.lit("1996-01-01").cast("date").alias("valid_from"),
+        F.lit("1998-12-31").cast("date").alias("valid_to"),
+        F.lit(500).alias("lot_size"),
+    )
+    return scalar.apply_lot_sizes(bars(spark, d), ex, "stock_id", "trade_date", "volume").select(
+        *KEY, "shares", "lot_violation"
+    )
 
 
-@query("fn_labels_and_periods", """select p_partkey, case when p_size % 4 = 0 then null else p_size % 4 / 1000.0 end::double as ratio, case when p_size % 3 = 0 then p_size::double end as quantity, case p_size % 3 when 0 then 'dividend' when 1 then 'rights' end as code,
-    case when p_size % 5 > 0 and p_size % 5 <= 4 then (1911 + 100 + p_size % 20)::varchar || 'Q' || (p_size % 5)::varchar end as period, (1911 + p_size)::smallint as year, list_aggregate(list_sort(list_distinct(string_split((p_size * 121)::varchar, ''))), 'string_agg', ',') as digits from part""")
+@query(
+    "fn_labels_and_periods",
+    """select p_partkey, case when p_size % 4 = 0 then null else p_size % 4 / 1000.0 end::double as ratio, case when
+    p_size % 3 = 0 then p_size::double end as quantity, case p_size % 3 when 0 then 'dividend' when 1 then 'rights'
+    end as code,
+    case when p_size % 5 > 0 and p_size % 5 <= 4 then (1911 + 100 + p_size % 20)::varchar || 'Q' || (p_size %
+    5)::varchar end as period, (1911 + p_size)::smallint as year,
+    list_aggregate(list_sort(list_distinct(string_split((p_size * 121)::varchar, ''))), 'string_agg', ',') as digits
+    from part""",
+)
 def _(spark, d):
     p = table(spark, d, "part")
     s = F.col("p_size")
     label = F.when(s % 3 == 0, "息").when(s % 3 == 1, " 權").otherwise("other")
     quarter = F.concat((s % 20 + 100).cast("string"), F.when(s % 2 == 0, "/").otherwise("Q"), (s % 5).cast("string"))
-    text = F.when(s % 3 == 0, F.concat(s.cast("string"), F.lit(" 股"))).otherwise(F.concat(s.cast("string"), F.lit(" 元")))
-    return p.select("p_partkey", scalar.per_thousand(s % 4).cast("double").alias("ratio"), scalar.quantity(text, "股").cast("double").alias("quantity"), scalar.label_code(label, {"息": "dividend", "權": "rights"}).alias("code"), scalar.report_period(quarter).alias("period"), scalar.gregorian_year(s.cast("string")).alias("year"), scalar.digit_codes((s * 121).cast("string")).alias("digits"))
+    text = F.when(s % 3 == 0, F.concat(s.cast("string"), F.lit(" 股"))).otherwise(
+        F.concat(s.cast("string"), F.lit(" 元"))
+    )
+    return p.select(
+        "p_partkey",
+        scalar.per_thousand(s % 4).cast("double").alias("ratio"),
+        scalar.quantity(text, "股").cast("double").alias("quantity"),
+        scalar.label_code(label, {"息": "dividend", "權": "rights"}).alias("code"),
+        scalar.report_period(quarter).alias("period"),
+        scalar.gregorian_year(s.cast("string")).alias("year"),
+        scalar.digit_codes((s * 121).cast("string")).alias("digits"),
+    )
 
 
 @query(
     "fn_accounting_amounts",
     """with x as (select o_orderkey, o_orderkey % 13 as k, floor(o_totalprice)::bigint as v from orders)
-    select o_orderkey, case when k in (0, 12) then v when k in (1, 2) then -v when k = 3 then v * 1000 when k = 6 then v / 100.0 when k = 7 then -v / 1000000.0 when k = 8 then v + 0.25 end::double as value,
+    select o_orderkey, case when k in (0, 12) then v when k in (1, 2) then -v when k = 3 then v * 1000 when k = 6 then
+    v / 100.0 when k = 7 then -v / 1000000.0 when k = 8 then v + 0.25 end::double as value,
     k in (4, 9, 10, 11) as bad from x""",
 )
 def _(spark, d):
     k, v = F.col("o_orderkey") % 13, F.format_number(F.floor("o_totalprice"), 0)
-    text = F.when(k.isin(1, 4), F.concat(F.lit("("), v, F.lit(")"))).when(k == 5, "see note").when(k == 8, F.concat(v, F.lit(".25")))
-    text = text.when(k == 10, "not an amount").when(k == 11, "NaN").when(k == 12, F.concat(F.lit(" "), v, F.lit(" "))).otherwise(v)
+    text = F.when(k.isin(1, 4), F.concat(F.lit("("), v, F.lit(")"))).when(k == 5, "see note").when(
+        k == 8, F.concat(v, F.lit(".25"))
+    )
+    text = text.when(k == 10, "not an amount").when(k == 11, "NaN").when(
+        k == 12, F.concat(F.lit(" "), v, F.lit(" "))
+    ).otherwise(v)
     sign = F.when(k.isin(2, 4, 7), "-").when(k == 9, "+").when(k == 3, "")
     power = F.when(k == 3, 3).when(k == 6, -2).when(k == 7, -6).when(k == 0, 0)
     x = orders(spark, d).select("o_orderkey", scalar.accounting_amount(text, sign, power).alias("a"))
@@ -85,7 +157,18 @@ def _(spark, d):
 
 
 #: Character references that stand in the pages or are added to them, and what they are.
-REFERENCES = {"&copy;": "©", "&middot;": "·", "&quot;": '"', "&#12288;": "\u3000", "&#x4E2D;": "中", "&mdash;": "—", "&nbsp;": "\u00a0", "&#39;": "'", "&lt;": "<", "&amp;": "&"}
+REFERENCES = {
+    "&copy;": "©",
+    "&middot;": "·",
+    "&quot;": '"',
+    "&#12288;": "\u3000",
+    "&#x4E2D;": "中",
+    "&mdash;": "—",
+    "&nbsp;": "\u00a0",
+    "&#39;": "'",
+    "&lt;": "<",
+    "&amp;": "&",
+}
 ADDED = "&#x4E2D;&mdash; &#39;&lt;&nbsp;&#12288;"
 
 
@@ -110,21 +193,50 @@ def _(spark, d):
     return table(spark, d, "pages").select("page_id", F.sha2(scalar.html_text(html), 256).alias("text_sha"))
 
 
-@query("fn_category_lookup", """select p_partkey, p_brand[7:7] as category_code, p_brand[7:7]::int <> 5 or p_size < 25 as exists_then from part""".replace("p_brand[7:7]", "right(p_brand, 1)"))
+@query(
+    "fn_category_lookup",
+    """select p_partkey, right(p_brand, 1) as category_code, right(p_brand, 1)::int <> 5 or p_size < 25 as exists_then
+    from part""",
+)
 def _(spark, d):
-    p = table(spark, d, "part").withColumn("day", F.make_date(F.lit(2000), F.lit(1), F.lit(1)) + F.col("p_size").cast("int")).withColumn("label", F.concat("p_brand", F.lit("業")))
-    names = p.select(F.col("p_brand").alias("name"), F.substring("p_brand", -1, 1).alias("code")).distinct().select("name", "code", F.lit(None).cast("date").alias("valid_from"), F.lit(None).cast("date").alias("valid_to"))
-    span = names.select("code").distinct().select("code", F.lit(None).cast("date").alias("valid_from"), F.when(F.col("code") == "5", F.lit("2000-01-26").cast("date")).alias("valid_to"))
+    p = table(spark, d, "part").withColumn(
+        "day", F.make_date(F.lit(2000), F.lit(1), F.lit(1)) + F.col("p_size").cast("int")
+    ).withColumn(
+        "label", F.concat("p_brand", F.lit("業"))
+    )
+    names = p.select(F.col("p_brand").alias("name"), F.substring("p_brand", -1, 1).alias("code")).distinct().select(
+        "name", "code", F.lit(None).cast("date").alias("valid_from"), F.lit(None).cast("date").alias("valid_to")
+    )
+    span = names.select("code").distinct().select(
+        "code",
+        F.lit(None).cast("date").alias("valid_from"),
+        F.when(F.col("code") == "5", F.lit("2000-01-26").cast("date")).alias("valid_to"),
+    )
     x = scalar.with_category(p.select("p_partkey", "label", "day"), names, "label", "day")
-    return scalar.category_exists(x.select("p_partkey", "category_code", "day"), span, "category_code", "day").select("p_partkey", "category_code", F.col("category_exists").alias("exists_then"))
+    return scalar.category_exists(x.select("p_partkey", "category_code", "day"), span, "category_code", "day").select(
+        "p_partkey", "category_code", F.col("category_exists").alias("exists_then")
+    )
 
 
-@query("fn_names_and_identity", """select p_partkey, 'A' || p_size::varchar as code, p_name as name, case when p_size % 2 = 0 then 'sec/' || p_brand || '/' || p_type else 'sec/' || p_type end as identity, case when p_size % 2 = 0 then 'main' else 'second' end as exchange, case when p_size % 10 = 0 then 'X' end as direction from part""")
+@query(
+    "fn_names_and_identity",
+    """select p_partkey, 'A' || p_size::varchar as code, p_name as name, case when p_size % 2 = 0 then 'sec/' ||
+    p_brand || '/' || p_type else 'sec/' || p_type end as identity, case when p_size % 2 = 0 then 'main' else 'second'
+    end as exchange, case when p_size % 10 = 0 then 'X' end as direction from part""",
+)
 def _(spark, d):
     s = F.col("p_size")
     cell = scalar.split_code_name(F.concat(F.lit("A"), s.cast("string"), F.lit("　"), F.col("p_name")))
     title = F.when(s % 2 == 0, F.concat(F.lit("title ("), F.col("p_brand"), F.lit(")"))).otherwise("title")
-    x = table(spark, d, "part").select("p_partkey", cell.alias("c"), scalar.index_identity(F.lit("sec"), title, F.col("p_type")).alias("identity"), scalar.exchange_of(F.when(s % 2 == 0, "alpha").otherwise("beta"), {"alpha": "main", "beta": "second"}).alias("exchange"), scalar.reason_direction(F.when(s % 10 == 0, "除權息").otherwise("1.2"), ["除權", "除息"]).alias("direction"))
+    x = table(spark, d, "part").select(
+        "p_partkey",
+        cell.alias("c"),
+        scalar.index_identity(F.lit("sec"), title, F.col("p_type")).alias("identity"),
+        scalar.exchange_of(
+            F.when(s % 2 == 0, "alpha").otherwise("beta"), {"alpha": "main", "beta": "second"}
+        ).alias("exchange"),
+        scalar.reason_direction(F.when(s % 10 == 0, "除權息").otherwise("1.2"), ["除權", "除息"]).alias("direction"),
+    )
     return x.select("p_partkey", "c.code", "c.name", "identity", "exchange", "direction")
 
 
@@ -139,198 +251,477 @@ def raw(spark, d):
     """Payloads built from all line items: a file per day and block of orders, some with another header."""
     li = table(spark, d, "lineitem").withColumn("day", F.col("l_shipdate").cast("date"))
     li = li.withColumn("block", F.expr(f"l_orderkey div {BLOCK}"))
-    row = F.array(F.col("l_suppkey").cast("string"), F.col("l_quantity").cast("bigint").cast("string"), F.floor("l_extendedprice").cast("string"))
-    g = li.groupBy("day", "block").agg(F.array_sort(F.collect_list(F.struct("l_orderkey", "l_linenumber", row.alias("r")))).alias("x"))
+    row = F.array(
+        F.col("l_suppkey").cast("string"),
+        F.col("l_quantity").cast("bigint").cast("string"),
+        F.floor("l_extendedprice").cast("string"),
+    )
+    g = li.groupBy("day", "block").agg(
+        F.array_sort(F.collect_list(F.struct("l_orderkey", "l_linenumber", row.alias("r")))).alias("x")
+    )
     data = F.transform("x", lambda v: v["r"])
-    fields = F.when(F.dayofmonth("day") == 3, F.array(F.lit("code"), F.lit("amount"), F.lit("price"))).otherwise(F.array(*[F.lit(h) for h in HEADER]))
+    fields = F.when(
+        F.dayofmonth("day") == 3, F.array(F.lit("code"), F.lit("amount"), F.lit("price"))
+    ).otherwise(F.array(*[F.lit(h) for h in HEADER]))
     one = F.struct(F.lit("market section").alias("title"), fields.alias("fields"), data.alias("data"))
     tables_ = F.to_json(F.struct(F.lit("OK").alias("stat"), F.array(one).alias("tables")))
-    flat = F.to_json(F.struct(F.lit("OK").alias("stat"), F.lit("market section").alias("title"), fields.alias("fields"), data.alias("data")))
+    flat = F.to_json(
+        F.struct(
+            F.lit("OK").alias("stat"),
+            F.lit("market section").alias("title"),
+            fields.alias("fields"),
+            data.alias("data"),
+        )
+    )
     body = F.when(F.dayofmonth("day") % 2 == 0, tables_).otherwise(flat)
-    return g.select(F.concat_ws("/", F.col("day").cast("string"), F.col("block").cast("string")).alias("file"), "day", body.alias("body"))
+    return g.select(
+        F.concat_ws("/", F.col("day").cast("string"), F.col("block").cast("string")).alias("file"),
+        "day",
+        body.alias("body"),
+    )
 
 
-_RAW = f"""with li as (select *, l_shipdate::date as day, l_shipdate::date::varchar || '/' || (l_orderkey // {BLOCK})::varchar as file from lineitem)"""
+_RAW = f"""with li as (select *, l_shipdate::date as day, l_shipdate::date::varchar || '/' || (l_orderkey //
+    {BLOCK})::varchar as file from lineitem)"""
 
 
-@query("source_fields_data", f"""{_RAW} select file, l_suppkey::varchar as code, l_quantity::bigint as qty, null::varchar as violation from li where day(day) <> 3 union all select distinct file, null, null, 'header_mismatch' from li where day(day) = 3""")
+@query(
+    "source_fields_data",
+    f"""{_RAW} select file, l_suppkey::varchar as code, l_quantity::bigint as qty, null::varchar as violation from li
+    where day(day) <> 3 union all select distinct file, null, null, 'header_mismatch' from li where day(day) = 3""",
+)
 def _(spark, d):
     x = payloads.explode_fields_data(raw(spark, d), HEADER, "file")
     return x.select("file", "code", F.col("qty").cast("bigint").alias("qty"), "violation")
 
 
-@query("source_header_variants", f"""{_RAW} select file, l_suppkey::varchar as code, l_quantity::bigint * case when day(day) = 3 then 1000 else 1 end as qty, case when day(day) = 3 then 'lot' else 'share' end as unit from li""")
+@query(
+    "source_header_variants",
+    f"""{_RAW} select file, l_suppkey::varchar as code, l_quantity::bigint * case when day(day) = 3 then 1000 else 1
+    end as qty, case when day(day) = 3 then 'lot' else 'share' end as unit from li""",
+)
 def _(spark, d):
     t = payloads.payload_tables(raw(spark, d))
-    variants = {tuple(HEADER): {"code": 0, "qty": 1, "price": 2}, ("code", "amount", "price"): {"code": 0, "qty": 1, "price": 2}}
+    variants = {
+        tuple(HEADER): {"code": 0, "qty": 1, "price": 2}, ("code", "amount", "price"): {"code": 0, "qty": 1, "price": 2}
+    }
     x = payloads.by_header_variant(t, variants, {tuple(HEADER): "share", ("code", "amount", "price"): "lot"})
-    return x.where("known_header").select("file", "code", scalar.to_base_unit(F.col("qty").cast("bigint"), F.col("unit")).alias("qty"), "unit")
+    return x.where("known_header").select(
+        "file", "code", scalar.to_base_unit(F.col("qty").cast("bigint"), F.col("unit")).alias("qty"), "unit"
+    )
 
 
-@query("source_sections", f"""{_RAW} select file, 'market/' || l_suppkey::varchar as identity, null::varchar as violation from li where day(day) <> 3""")
+@query(
+    "source_sections",
+    f"""{_RAW} select file, 'market/' || l_suppkey::varchar as identity, null::varchar as violation from li where
+    day(day) <> 3""",
+)
 def _(spark, d):
-    return payloads.explode_sections(raw(spark, d), {tuple(HEADER): "market"}, "file").select("file", "identity", "violation")
+    return payloads.explode_sections(raw(spark, d), {tuple(HEADER): "market"}, "file").select(
+        "file", "identity", "violation"
+    )
 
 
-@query("source_trading_days", days="trade_date", sql="""with o as (select distinct o_orderdate::date as d from orders), m as (select date_trunc('month', d)::date as month, d from o)
-    select case when month(month) % 6 = 0 then month - interval 1 month else month end::date::varchar as month, d as trade_date, case when month(month) % 6 = 0 then 'outside_month' end as violation from m""")
+@query(
+    "source_trading_days",
+    days="trade_date",
+    sql="""with o as (select distinct o_orderdate::date as d from orders), m as (select date_trunc('month', d)::date
+    as month, d from o)
+    select case when month(month) % 6 = 0 then month - interval 1 month else month end::date::varchar as month, d as
+    trade_date, case when month(month) % 6 = 0 then 'outside_month' end as violation from m""",
+)
 def _(spark, d):
     o = orders(spark, d).select(F.col("o_orderdate").cast("date").alias("d")).distinct()
-    text = F.concat_ws("/", (F.year("d") - 1911).cast("string"), F.lpad(F.month("d").cast("string"), 2, "0"), F.lpad(F.dayofmonth("d").cast("string"), 2, "0"))
+    text = F.concat_ws(
+        "/",
+        (F.year("d") - 1911).cast("string"),
+        F.lpad(F.month("d").cast("string"), 2, "0"),
+        F.lpad(F.dayofmonth("d").cast("string"), 2, "0"),
+    )
     g = o.groupBy(F.trunc("d", "month").alias("month")).agg(F.collect_list(F.array(text)).alias("data"))
     asked = F.when(F.month("month") % 6 == 0, F.add_months("month", -1)).otherwise(F.col("month"))
-    files = g.select(asked.alias("month"), F.to_json(F.struct(F.array(F.lit("day")).alias("fields"), "data")).alias("body"))
+    files = g.select(
+        asked.alias("month"), F.to_json(F.struct(F.array(F.lit("day")).alias("fields"), "data")).alias("body")
+    )
     return payloads.trading_days(files, "month").withColumn("month", F.col("month").cast("string"))
 
 
 @query(
     "source_html_rows",
-    f"""with p as (select page_id, regexp_extract_all(html, '<li[^>]*>(.*?)</li>', 1) as items from pages), c as (select page_id, unnest(items) as item, generate_subscripts(items, 1) as n from p)
-    select page_id, (n - 1)::int as row_no, {stripped_sql(decoded_sql("regexp_replace(item, '<[^>]+>', '', 'g')"))} as label, case when n % 7 = 0 then 'cell_count' end as violation from c""",
+    f"""with p as (select page_id, regexp_extract_all(html, '<li[^>]*>(.*?)</li>', 1) as items from pages), c as
+    (select page_id, unnest(items) as item, generate_subscripts(items, 1) as n from p)
+    select page_id, (n - 1)::int as row_no, {stripped_sql(decoded_sql("regexp_replace(item, '<[^>]+>', '', 'g')"))} as
+    label, case when n % 7 = 0 then 'cell_count' end as violation from c""",
 )
 def _(spark, d):
-    """A row per list item of the stored pages, read as table rows of one cell; every seventh lacks its cell's end and is a violation."""
-    mark = F.array_join(F.transform(F.split("html", "(?=<li[^>]*>)"), lambda part, i: F.when((i > 0) & (i % 7 == 0), F.replace(part, F.lit("</li>"), F.lit("</td><td></li>"))).otherwise(part)), "")
+    """A row per list item of the stored pages, read as table rows of one cell; every seventh lacks its cell's end and
+    is a violation."""
+    mark = F.array_join(
+        F.transform(
+            F.split("html", "(?=<li[^>]*>)"),
+            lambda part, i: F.when(
+                (i > 0) & (i % 7 == 0), F.replace(part, F.lit("</li>"), F.lit("</td><td></li>"))
+            ).otherwise(part),
+        ),
+        "",
+    )
     html = F.regexp_replace(F.regexp_replace(mark, "<li[^>]*>", "<tr><td>"), "</li>", "</td></tr>")
-    x = payloads.html_table_rows(table(spark, d, "pages").select("page_id", html.alias("html"), F.col("html").alias("page")), "page_id", cells=1)
+    x = payloads.html_table_rows(
+        table(spark, d, "pages").select("page_id", html.alias("html"), F.col("html").alias("page")), "page_id", cells=1
+    )
     return x.select("page_id", "row_no", F.col("cells")[0].alias("label"), "violation")
 
 
 @query("source_page_links", """select page_id, len(regexp_extract_all(html, '<li\\b[^>]*>')) as items from pages""")
 def _(spark, d):
-    return table(spark, d, "pages").select("page_id", F.size(F.regexp_extract_all("html", F.lit(r"(<li\b[^>]*>)"))).cast("bigint").alias("items"))
+    return table(spark, d, "pages").select(
+        "page_id", F.size(F.regexp_extract_all("html", F.lit(r"(<li\b[^>]*>)"))).cast("bigint").alias("items")
+    )
 
 
-@query("source_tagged_facts", days="period_start period_end", sql=f"""{with_('facts')} select report_id as doc, row_number() over (partition by report_id) > 0 as one, account_code as concept, f.value, f.period_start, f.period_end, statement, case when report_id % 11 = 0 and period_start is null then 'undefined_context' end as violation from facts f""".replace("f.period_start, f.period_end,", "case when report_id % 11 = 0 and period_start is null then null else f.period_start end as period_start, case when report_id % 11 = 0 and period_start is null then null else f.period_end end as period_end,").replace("row_number() over (partition by report_id) > 0 as one, ", ""))
+@query(
+    "source_tagged_facts",
+    days="period_start period_end",
+    sql=f"""{with_('facts')}, x as (select *, report_id % 11 = 0 and period_start is null as undefined from facts)
+    select report_id as doc, account_code as concept, value, case when not undefined then period_start end as period_start,
+        case when not undefined then period_end end as period_end, statement,
+        case when undefined then 'undefined_context' end as violation from x""",
+)
 def _(spark, d):
     f = facts(reports(spark, d))
-    ref = F.concat(F.lit("c"), F.coalesce(F.date_format("period_start", "yyyyMMdd"), F.lit("0")), F.date_format("period_end", "yyyyMMdd"))
-    period = F.when(F.col("period_start").isNull(), F.concat(F.lit("<xbrli:instant>"), F.col("period_end").cast("string"), F.lit("</xbrli:instant>"))).otherwise(F.concat(F.lit("<xbrli:startDate>"), F.col("period_start").cast("string"), F.lit("</xbrli:startDate><xbrli:endDate>"), F.col("period_end").cast("string"), F.lit("</xbrli:endDate>")))
-    context = F.when(~((F.col("report_id") % 11 == 0) & F.col("period_start").isNull()), F.concat(F.lit('<xbrli:context id="'), ref, F.lit('">'), period, F.lit("</xbrli:context>"))).otherwise("")
-    tag = F.concat(F.lit('<a data-statement="'), F.col("statement"), F.lit('"></a><ix:nonFraction name="'), F.col("account_code"), F.lit('" contextRef="'), ref, F.lit('" unitRef="u">'), F.format_number("value", 0), F.lit("</ix:nonFraction>"))
+    ref = F.concat(
+        F.lit("c"),
+        F.coalesce(F.date_format("period_start", "yyyyMMdd"), F.lit("0")),
+        F.date_format("period_end", "yyyyMMdd"),
+    )
+    period = F.when(
+        F.col("period_start").isNull(),
+        F.concat(F.lit("<xbrli:instant>"), F.col("period_end").cast("string"), F.lit("</xbrli:instant>")),
+    ).otherwise(
+        F.concat(
+            F.lit("<xbrli:startDate>"),
+            F.col("period_start").cast("string"),
+            F.lit("</xbrli:startDate><xbrli:endDate>"),
+            F.col("period_end").cast("string"),
+            F.lit("</xbrli:endDate>"),
+        )
+    )
+    context = F.when(
+        ~((F.col("report_id") % 11 == 0) & F.col("period_start").isNull()),
+        F.concat(F.lit('<xbrli:context id="'), ref, F.lit('">'), period, F.lit("</xbrli:context>")),
+    ).otherwise("")
+    tag = F.concat(
+        F.lit('<a data-statement="'),
+        F.col("statement"),
+        F.lit('"></a><ix:nonFraction name="'),
+        F.col("account_code"),
+        F.lit('" contextRef="'),
+        ref,
+        F.lit('" unitRef="u">'),
+        F.format_number("value", 0),
+        F.lit("</ix:nonFraction>"),
+    )
     unit = F.lit('<xbrli:unit id="u"><xbrli:measure>TWD</xbrli:measure></xbrli:unit>')
-    docs = f.groupBy(F.col("report_id").alias("doc")).agg(F.concat(unit, F.array_join(F.collect_set(context), ""), F.array_join(F.collect_list(tag), "")).alias("body"))
+    docs = f.groupBy(F.col("report_id").alias("doc")).agg(
+        F.concat(unit, F.array_join(F.collect_set(context), ""), F.array_join(F.collect_list(tag), "")).alias("body")
+    )
     x = payloads.extract_facts(docs, "doc")
-    return x.select("doc", "concept", scalar.number(F.col("value_text"))["value"].cast("bigint").alias("value"), "period_start", "period_end", "statement", "violation")
+    return x.select(
+        "doc",
+        "concept",
+        scalar.number(F.col("value_text"))["value"].cast("bigint").alias("value"),
+        "period_start",
+        "period_end",
+        "statement",
+        "violation",
+    )
 
 
 @query(
     "source_announcements",
     days="effective_date",
-    sql="""select p_partkey, (1000 + p_size)::varchar || case p_size % 3 when 1 then 'A' when 2 then '9B' else '' end as stock_id, 'I' || (p_size % 7)::varchar as old_industry, 'J' || (p_size % 9)::varchar as new_industry,
-    case when p_size % 10 <> 0 then make_date(2020, 1 + p_size % 12, 1) end as effective_date, case when p_size % 10 = 0 then 'effective_date_not_unique' end as violation from part
-    union all select p_partkey, '8000', 'K', 'L', case when p_size % 10 <> 0 then make_date(2020, 1 + p_size % 12, 1) end, case when p_size % 10 = 0 then 'effective_date_not_unique' end from part where p_size % 2 = 0""",
+    sql="""select p_partkey, (1000 + p_size)::varchar || case p_size % 3 when 1 then 'A' when 2 then '9B' else '' end
+    as stock_id, 'I' || (p_size % 7)::varchar as old_industry, 'J' || (p_size % 9)::varchar as new_industry,
+    case when p_size % 10 <> 0 then make_date(2020, 1 + p_size % 12, 1) end as effective_date, case when p_size % 10 =
+    0 then 'effective_date_not_unique' end as violation from part
+    union all select p_partkey, '8000', 'K', 'L', case when p_size % 10 <> 0 then make_date(2020, 1 + p_size % 12, 1)
+    end, case when p_size % 10 = 0 then 'effective_date_not_unique' end from part where p_size % 2 = 0""",
 )
 def _(spark, d):
     """Notices in two forms: numbered paragraphs, one of which is about the emerging board, and a single one."""
     s = F.col("p_size")
     day = F.concat(F.lit("實施日期：109年"), (s % 12 + 1).cast("string"), F.lit("月1日"))
-    other = F.when(s % 10 == 0, "；自108年1月2日起實施").when(s % 10 == 1, F.concat(F.lit("，自109年"), (s % 12 + 1).cast("string"), F.lit("月1日起實施"))).otherwise("")
+    other = F.when(s % 10 == 0, "；自108年1月2日起實施").when(
+        s % 10 == 1, F.concat(F.lit("，自109年"), (s % 12 + 1).cast("string"), F.lit("月1日起實施"))
+    ).otherwise("")
     code = F.concat((s + 1000).cast("string"), F.when(s % 3 == 1, "A").when(s % 3 == 2, "9B").otherwise(""))
     verb = F.when(s % 4 < 2, "改為").otherwise("調整為")
-    one = F.concat(F.lit("某公司（代號："), code, F.lit("）由「I"), (s % 7).cast("string"), F.lit("」"), verb, F.lit("「J"), (s % 9).cast("string"), F.lit("」"))
-    numbered = F.concat(F.lit("公告：代號8000由「K」改為「L」\n一、"), one, F.lit("，"), day, other, F.lit("\n二、興櫃公司：\n代號9999由「A」改為「B」\n三、其他 9998 由 A 改為 B"))
+    one = F.concat(
+        F.lit("某公司（代號："),
+        code,
+        F.lit("）由「I"),
+        (s % 7).cast("string"),
+        F.lit("」"),
+        verb,
+        F.lit("「J"),
+        (s % 9).cast("string"),
+        F.lit("」"),
+    )
+    numbered = F.concat(
+        F.lit("公告：代號8000由「K」改為「L」\n一、"),
+        one,
+        F.lit("，"),
+        day,
+        other,
+        F.lit("\n二、興櫃公司：\n代號9999由「A」改為「B」\n三、其他 9998 由 A 改為 B"),
+    )
     text = F.when(s % 2 == 0, numbered).otherwise(F.concat(day, other, F.lit("\n"), one))
     return payloads.announcement_changes(table(spark, d, "part").select("p_partkey", text.alias("text")), "p_partkey")
 
 
 @query(
     "source_notice_subjects",
-    """select p_partkey, case when p_size % 5 = 0 then 'regulation' when p_size % 5 in (1, 2) then 'out_of_scope' else 'change' end as subject_class from part""",
+    """select p_partkey, case when p_size % 5 = 0 then 'regulation' when p_size % 5 in (1, 2) then 'out_of_scope' else
+    'change' end as subject_class from part""",
 )
 def _(spark, d):
     k = F.col("p_size") % 5
     words = F.when(k == 0, "修正上市公司產業類別要點").when(k == 1, "興櫃公司產業類別").when(k == 2, "創櫃板公司").when(k == 3, "上櫃及興櫃公司產業類別調整")
-    return table(spark, d, "part").select("p_partkey", payloads.subject_class(F.concat(words.otherwise("上市公司產業類別調整"), F.col("p_name"))).alias("subject_class"))
+    return table(spark, d, "part").select(
+        "p_partkey",
+        payloads.subject_class(F.concat(words.otherwise("上市公司產業類別調整"), F.col("p_name"))).alias("subject_class"),
+    )
 
 
-@query("store_content_addressed", """with h as (select sha256(text) as sha256, strlen(text) as byte_size, doc_id from documents where text is not null) select sha256, max(byte_size)::bigint as byte_size, count(*) as puts, not bool_or(sha256 in (select sha256 from h where doc_id % 3 = 0)) as created from h where doc_id % 3 <> 0 group by 1""")
+@query(
+    "store_content_addressed",
+    """with h as (select sha256(text) as sha256, strlen(text) as byte_size, doc_id from documents where text is not
+    null) select sha256, max(byte_size)::bigint as byte_size, count(*) as puts, not bool_or(sha256 in (select sha256
+    from h where doc_id % 3 = 0)) as created from h where doc_id % 3 <> 0 group by 1""",
+)
 def _(spark, d):
     docs = table(spark, d, "documents").where("text is not null").select("doc_id", F.col("text").alias("content"))
     store = docs.where("doc_id % 3 = 0").select(F.sha2("content", 256).alias("sha256"))
-    return tables.content_addressed(docs.where("doc_id % 3 <> 0"), store).withColumn("byte_size", F.col("byte_size").cast("bigint"))
+    return tables.content_addressed(docs.where("doc_id % 3 <> 0"), store).withColumn(
+        "byte_size", F.col("byte_size").cast("bigint")
+    )
 
 
-@query("store_verify_content", """select doc_id as resource_key, case when doc_id % 50 = 0 then 'missing' when doc_id % 50 = 1 then 'size_differs' else 'digest_differs' end as violation from documents where doc_id % 50 < 3""")
+@query(
+    "store_verify_content",
+    """select doc_id as resource_key, case when doc_id % 50 = 0 then 'missing' when doc_id % 50 = 1 then
+    'size_differs' else 'digest_differs' end as violation from documents where doc_id % 50 < 3""",
+)
 def _(spark, d):
-    docs = table(spark, d, "documents").select(F.col("doc_id").alias("resource_key"), F.coalesce("text", F.lit("")).alias("content"))
+    docs = table(spark, d, "documents").select(
+        F.col("doc_id").alias("resource_key"), F.coalesce("text", F.lit("")).alias("content")
+    )
     k = F.col("resource_key") % 50
-    log = docs.select("resource_key", (F.octet_length("content") + F.when(k == 1, 1).otherwise(0)).alias("byte_size"), F.when(k == 2, "0").otherwise(F.sha2("content", 256)).alias("sha256"))
+    log = docs.select(
+        "resource_key",
+        (F.octet_length("content") + F.when(k == 1, 1).otherwise(0)).alias("byte_size"),
+        F.when(k == 2, "0").otherwise(F.sha2("content", 256)).alias("sha256"),
+    )
     return tables.verify_content(docs.where("resource_key % 50 <> 0"), log).select("resource_key", "violation")
 
 
-@query("store_upsert_reference", """select c_custkey, case when c_custkey % 3 = 0 then c_nationkey + 1 else c_nationkey end as nation, case when c_custkey % 2 = 1 then 'old' when c_custkey % 3 = 0 or c_custkey % 10 = 4 then 'new' else 'old' end as fetch_id from customer where c_custkey % 2 = 0 or c_custkey % 10 <> 4""".replace("case when c_custkey % 3 = 0 then c_nationkey + 1", "case when c_custkey % 6 = 0 then c_nationkey + 1"))
+@query(
+    "store_upsert_reference",
+    """select c_custkey, case when c_custkey % 6 = 0 then c_nationkey + 1 else c_nationkey end as nation,
+        case when c_custkey % 2 = 1 then 'old' when c_custkey % 3 = 0 or c_custkey % 10 = 4 then 'new' else 'old' end
+        as fetch_id from customer where c_custkey % 2 = 0 or c_custkey % 10 <> 4""",
+)
 def _(spark, d):
     c = table(spark, d, "customer")
-    stored = c.where("c_custkey % 10 <> 4").select("c_custkey", F.col("c_nationkey").alias("nation"), F.lit("old").alias("fetch_id"))
-    incoming = c.where("c_custkey % 2 = 0").select("c_custkey", F.when(F.col("c_custkey") % 3 == 0, F.col("c_nationkey") + 1).otherwise(F.col("c_nationkey")).alias("nation"), F.lit("new").alias("fetch_id"))
+    stored = c.where("c_custkey % 10 <> 4").select(
+        "c_custkey", F.col("c_nationkey").alias("nation"), F.lit("old").alias("fetch_id")
+    )
+    incoming = c.where("c_custkey % 2 = 0").select(
+        "c_custkey",
+        F.when(F.col("c_custkey") % 3 == 0, F.col("c_nationkey") + 1).otherwise(F.col("c_nationkey")).alias("nation"),
+        F.lit("new").alias("fetch_id"),
+    )
     return tables.upsert_reference(stored, incoming, ["c_custkey"], ["nation"])
 
 
-@query("export_json", """select '{"s_suppkey":' || s_suppkey::varchar || ',"acct":' || (s_acctbal::decimal(12,4))::varchar || ',"missing":null,"day":"2024-01-02"}' as json from supplier""")
+@query(
+    "export_json",
+    """select '{"s_suppkey":' || s_suppkey::varchar || ',"acct":' || (s_acctbal::decimal(12,4))::varchar || ',"missing":null,"day":"2024-01-02"}'
+    as json from supplier""",
+)
 def _(spark, d):
     s = table(spark, d, "supplier")
-    return tables.export_json(s.select("s_suppkey", F.col("s_acctbal").cast("decimal(12,4)").alias("acct"), F.lit(None).cast("string").alias("missing"), F.lit("2024-01-02").cast("date").alias("day")))
+    return tables.export_json(
+        s.select(
+            "s_suppkey",
+            F.col("s_acctbal").cast("decimal(12,4)").alias("acct"),
+            F.lit(None).cast("string").alias("missing"),
+            F.lit("2024-01-02").cast("date").alias("day"),
+        )
+    )
 
 
-@query("keep_listed_indices", """select p_brand as source, p_type as index_name, count(*) as n from part where (p_brand, p_type) in (select (p_brand, p_type) from part where p_size = 7) group by 1, 2""")
+@query(
+    "keep_listed_indices",
+    """select p_brand as source, p_type as index_name, count(*) as n from part where (p_brand, p_type) in (select
+    (p_brand, p_type) from part where p_size = 7) group by 1, 2""",
+)
 def _(spark, d):
     p = table(spark, d, "part").withColumnsRenamed({"p_brand": "source", "p_type": "index_name"})
     return tables.keep_listed(p, p.where("p_size = 7")).groupBy("source", "index_name").agg(F.count("*").alias("n"))
 
 
-@query("check_ohlc", f"""{with_('bars')}, x as (select stock_id, trade_date, open - case when volume % 9 = 1 then 100000 else 0 end as o, high - case when volume % 9 = 2 then 100000 else 0 end as h, low + case when volume % 9 = 3 then 100000 else 0 end as l, close from bars),
-    v as (select case when least(o, h, l, close) < 0 then 'negative_price' when h < l then 'high_below_low' when o < l or o > h then 'open_outside' when close < l or close > h then 'close_outside' end as violation from x) select violation, count(*) as n from v group by 1""")
+@query(
+    "check_ohlc",
+    f"""{with_('bars')}, x as (select stock_id, trade_date, open - case when volume % 9 = 1 then 100000 else 0 end as
+    o, high - case when volume % 9 = 2 then 100000 else 0 end as h, low + case when volume % 9 = 3 then 100000 else 0
+    end as l, close from bars),
+    v as (select case when least(o, h, l, close) < 0 then 'negative_price' when h < l then 'high_below_low' when o < l
+    or o > h then 'open_outside' when close < l or close > h then 'close_outside' end as violation from x) select
+    violation, count(*) as n from v group by 1""",
+)
 def _(spark, d):
     k = F.col("volume") % 9
-    b = bars(spark, d).withColumns({"open": F.col("open") - F.when(k == 1, 100000).otherwise(0), "high": F.col("high") - F.when(k == 2, 100000).otherwise(0), "low": F.col("low") + F.when(k == 3, 100000).otherwise(0)})
+    b = bars(spark, d).withColumns(
+        {
+            "open": F.col("open") - F.when(k == 1, 100000).otherwise(0),
+            "high": F.col("high") - F.when(k == 2, 100000).otherwise(0),
+            "low": F.col("low") + F.when(k == 3, 100000).otherwise(0),
+        }
+    )
     return b.withColumn("violation", validate.ohlc_violation()).groupBy("violation").agg(F.count("*").alias("n"))
 
 
-@query("check_file_gate", """with f as (select l_shipdate::date as day, count(*) as rows from lineitem group by 1), r as (select day, case when day(day) = 5 then 'bad_status' when day(day) = 6 then 'no_data' when day(day) = 7 then 'date_mismatch' when day(day) = 8 then 'unit_changed' when rows % 5 = 0 then 'row_count_mismatch' end as reason_code from f)
-    select reason_code, case when reason_code is null then 'succeeded' when reason_code = 'bad_status' then 'failed' when reason_code = 'no_data' then 'empty' else 'quarantined' end as status, count(*) as n from r group by 1, 2""")
+@query(
+    "check_file_gate",
+    """with f as (select l_shipdate::date as day, count(*) as rows from lineitem group by 1), r as (select day, case
+    when day(day) = 5 then 'bad_status' when day(day) = 6 then 'no_data' when day(day) = 7 then 'date_mismatch' when
+    day(day) = 8 then 'unit_changed' when rows % 5 = 0 then 'row_count_mismatch' end as reason_code from f)
+    select reason_code, case when reason_code is null then 'succeeded' when reason_code = 'bad_status' then 'failed'
+    when reason_code = 'no_data' then 'empty' else 'quarantined' end as status, count(*) as n from r group by 1, 2""",
+)
 def _(spark, d):
-    f = table(spark, d, "lineitem").groupBy(F.col("l_shipdate").cast("date").alias("asked_date")).agg(F.count("*").alias("actual_rows"))
+    f = table(spark, d, "lineitem").groupBy(F.col("l_shipdate").cast("date").alias("asked_date")).agg(
+        F.count("*").alias("actual_rows")
+    )
     k = F.dayofmonth("asked_date")
-    g = f.select("asked_date", "actual_rows", F.when(k == 5, "sorry").when(k == 6, "no_data").otherwise("OK").alias("stat"), F.when(k == 7, F.date_add("asked_date", 1)).otherwise(F.col("asked_date")).alias("answered_date"), F.when(k == 8, "lot").otherwise("share").alias("unit"), F.lit("share").alias("known_unit"), (F.col("actual_rows") + F.when(F.col("actual_rows") % 5 == 0, 1).otherwise(0)).alias("declared_rows"))
+    g = f.select(
+        "asked_date",
+        "actual_rows",
+        F.when(k == 5, "sorry").when(k == 6, "no_data").otherwise("OK").alias("stat"),
+        F.when(k == 7, F.date_add("asked_date", 1)).otherwise(F.col("asked_date")).alias("answered_date"),
+        F.when(k == 8, "lot").otherwise("share").alias("unit"),
+        F.lit("share").alias("known_unit"),
+        (F.col("actual_rows") + F.when(F.col("actual_rows") % 5 == 0, 1).otherwise(0)).alias("declared_rows"),
+    )
     return validate.file_gate(g).groupBy("reason_code", "status").agg(F.count("*").alias("n"))
 
 
-@query("check_duplicate_keys", """select month, count(*) as duplicate_keys from (select date_trunc('month', l_shipdate)::date::varchar as month, l_suppkey, l_shipdate from lineitem group by all having count(*) > 1) group by 1""")
+@query(
+    "check_duplicate_keys",
+    """select month, count(*) as duplicate_keys from (select date_trunc('month', l_shipdate)::date::varchar as month,
+    l_suppkey, l_shipdate from lineitem group by all having count(*) > 1) group by 1""",
+)
 def _(spark, d):
     li = table(spark, d, "lineitem").withColumn("month", F.trunc("l_shipdate", "month").cast("string"))
     return validate.duplicate_keys(li, ["month"], ["l_suppkey", "l_shipdate"])
 
 
-@query("check_signs_ratios", f"""{with_('flows')}, x as (select case when net is null and nullif(volume, 0) is null then 'no_value' when volume < 0 then 'negative_value' end as a, case when net / 1000.0 < 0 or net / 1000.0 > 100 then 'r_out_of_bounds' end as b, case when net <> floor(net / 10) * 10 then true else false end as c from flows) select a as sign_violation, b as ratio_violation, count(*) as n, count(*) filter (c) as not_tens from x group by 1, 2""")
+@query(
+    "check_signs_ratios",
+    f"""{with_('flows')}, x as (select case when net is null and nullif(volume, 0) is null then 'no_value' when volume
+    < 0 then 'negative_value' end as a, case when net / 1000.0 < 0 or net / 1000.0 > 100 then 'r_out_of_bounds' end as
+    b, case when net <> floor(net / 10) * 10 then true else false end as c from flows) select a as sign_violation, b
+    as ratio_violation, count(*) as n, count(*) filter (c) as not_tens from x group by 1, 2""",
+)
 def _(spark, d):
-    f = flows(spark, d).withColumn("v", F.nullif("volume", F.lit(0))).withColumn("r", F.col("net") / 1000.0).withColumn("tens", F.col("net") / 10.0)
-    x = f.select(validate.sign_violation(["net", "v"], ["net"]).alias("sign_violation"), validate.ratio_violation(["r"]).alias("ratio_violation"), F.coalesce(validate.not_whole("tens"), F.lit(False)).alias("w"))
-    return x.groupBy("sign_violation", "ratio_violation").agg(F.count("*").alias("n"), F.count_if("w").alias("not_tens"))
+    f = flows(spark, d).withColumn("v", F.nullif("volume", F.lit(0))).withColumn("r", F.col("net") / 1000.0).withColumn(
+        "tens", F.col("net") / 10.0
+    )
+    x = f.select(
+        validate.sign_violation(["net", "v"], ["net"]).alias("sign_violation"),
+        validate.ratio_violation(["r"]).alias("ratio_violation"),
+        F.coalesce(validate.not_whole("tens"), F.lit(False)).alias("w"),
+    )
+    return x.groupBy("sign_violation", "ratio_violation").agg(
+        F.count("*").alias("n"), F.count_if("w").alias("not_tens")
+    )
 
 
-@query("check_valuations", """with x as (select p_brand, p_partkey, case when p_size % 5 = 0 then null else p_size % 7 - 1 end as pe, case when p_size % 3 = 0 then null else p_size % 4 end as pb, case when p_size % 11 = 0 then -1 when p_size % 5 = 0 then null else 1 end as dy from part),
-    v as (select *, case when coalesce(pe, pb, dy) is null then 'nothing_published' when pe <= 0 or pb <= 0 then 'ratio_not_positive' when dy < 0 then 'negative_yield' end as violation from x)
-    select p_brand, violation, count(*) as rejected, array_to_string(list_sort(list_slice(list_sort(list(p_partkey)), 1, 20)::varchar[]), ',') as items from v where violation is not null group by 1, 2""")
+@query(
+    "check_valuations",
+    """with x as (select p_brand, p_partkey, case when p_size % 5 = 0 then null else p_size % 7 - 1 end as pe, case
+    when p_size % 3 = 0 then null else p_size % 4 end as pb, case when p_size % 11 = 0 then -1 when p_size % 5 = 0
+    then null else 1 end as dy from part),
+    v as (select *, case when coalesce(pe, pb, dy) is null then 'nothing_published' when pe <= 0 or pb <= 0 then
+    'ratio_not_positive' when dy < 0 then 'negative_yield' end as violation from x)
+    select p_brand, violation, count(*) as rejected, array_to_string(list_sort(list_slice(list_sort(list(p_partkey)),
+    1, 20)::varchar[]), ',') as items from v where violation is not null group by 1, 2""",
+)
 def _(spark, d):
     s = F.col("p_size")
-    p = table(spark, d, "part").select("p_brand", "p_partkey", F.when(s % 5 != 0, s % 7 - 1).alias("pe_ratio"), F.when(s % 3 != 0, s % 4).alias("pb_ratio"), F.when(s % 11 == 0, -1).when(s % 5 != 0, 1).alias("dividend_yield"))
+    p = table(spark, d, "part").select(
+        "p_brand",
+        "p_partkey",
+        F.when(s % 5 != 0, s % 7 - 1).alias("pe_ratio"),
+        F.when(s % 3 != 0, s % 4).alias("pb_ratio"),
+        F.when(s % 11 == 0, -1).when(s % 5 != 0, 1).alias("dividend_yield"),
+    )
     _, rejected = validate.split(p.withColumn("violation", validate.valuation_violation()))
     return validate.reject_summary(rejected, ["p_brand", "violation"], "p_partkey")
 
 
-@query("check_actions", """with x as (select o_orderkey % 7 as t, o_orderkey % 3 as a, o_orderkey % 5 as b from orders), v as (select case when t in (0, 1) and a = 0 then 'cash_missing' when t in (2, 1) and b = 0 and (a = 0) then 'shares_missing' when (a <> 0) <> (b <> 0) then 'rights_without_price' when t = 3 and b = 0 then 'refund_without_cash' when t = 4 and a = 0 then 'increase_without_rights' when t = 5 and (a = 0 or b = 0 or a = b) then 'par_unchanged' end as term,
-    case when (a = 0) <> (b = 0) then 'share_pair' when t = 6 and a <> 0 and b <> 0 and b <= a then 'split_direction' end as invariant from x) select term, invariant, count(*) as n from v group by 1, 2""")
+@query(
+    "check_actions",
+    """with x as (select o_orderkey % 7 as t, o_orderkey % 3 as a, o_orderkey % 5 as b from orders), v as (select case
+    when t in (0, 1) and a = 0 then 'cash_missing' when t in (2, 1) and b = 0 and (a = 0) then 'shares_missing' when
+    (a <> 0) <> (b <> 0) then 'rights_without_price' when t = 3 and b = 0 then 'refund_without_cash' when t = 4 and a
+    = 0 then 'increase_without_rights' when t = 5 and (a = 0 or b = 0 or a = b) then 'par_unchanged' end as term,
+    case when (a = 0) <> (b = 0) then 'share_pair' when t = 6 and a <> 0 and b <> 0 and b <= a then 'split_direction'
+    end as invariant from x) select term, invariant, count(*) as n from v group by 1, 2""",
+)
 def _(spark, d):
     k = F.col("o_orderkey")
-    t = F.element_at(F.array(*[F.lit(x) for x in ("dividend", "dividend_and_rights", "rights", "refund", "cash_increase", "par_change", "split")]), (k % 7 + 1).cast("int"))
+    t = F.element_at(
+        F.array(
+            *[
+                F.lit(x)
+                for x in ("dividend", "dividend_and_rights", "rights", "refund", "cash_increase", "par_change", "split")
+            ]
+        ),
+        (k % 7 + 1).cast("int"),
+    )
     a, b = F.nullif(k % 3, F.lit(0)), F.nullif(k % 5, F.lit(0))
     none = F.lit(None).cast("date")
-    o = orders(spark, d).select(t.alias("event_type"), a.alias("cash"), b.alias("shares"), a.alias("rights_ratio"), b.alias("subscription_price"), b.alias("cash_return"), none.alias("halt_from"), none.alias("locator_date"), none.alias("resume_on"), a.alias("old_shares"), b.alias("new_shares"), none.alias("announced_on"), none.alias("ex_date"), none.alias("record_date"), none.alias("payment_date"))
-    return o.select(validate.action_term_violation().alias("term"), validate.action_invariant_violation().alias("invariant")).groupBy("term", "invariant").agg(F.count("*").alias("n"))
+    o = orders(spark, d).select(
+        t.alias("event_type"),
+        a.alias("cash"),
+        b.alias("shares"),
+        a.alias("rights_ratio"),
+        b.alias("subscription_price"),
+        b.alias("cash_return"),
+        none.alias("halt_from"),
+        none.alias("locator_date"),
+        none.alias("resume_on"),
+        a.alias("old_shares"),
+        b.alias("new_shares"),
+        none.alias("announced_on"),
+        none.alias("ex_date"),
+        none.alias("record_date"),
+        none.alias("payment_date"),
+    )
+    return o.select(
+        validate.action_term_violation().alias("term"), validate.action_invariant_violation().alias("invariant")
+    ).groupBy("term", "invariant").agg(F.count("*").alias("n"))
 
 
-@query("check_ambiguous_events", f"""{with_('actions')}, x as (select *, o_orderkey // 2 as locator from actions), y as (select *, count(*) over (partition by stock_id, locator) as l, count(*) over (partition by stock_id, ex_date) as dd from x) select o_orderkey, case when l > 1 then 'locator_repeats' else 'date_repeats' end as violation from y where l > 1 or dd > 1""")
+@query(
+    "check_ambiguous_events",
+    f"""{with_('actions')}, x as (select *, o_orderkey // 2 as locator from actions), y as (select *, count(*) over
+    (partition by stock_id, locator) as l, count(*) over (partition by stock_id, ex_date) as dd from x) select
+    o_orderkey, case when l > 1 then 'locator_repeats' else 'date_repeats' end as violation from y where l > 1 or dd >
+    1""",
+)
 def _(spark, d):
     a = actions(spark, d).withColumn("locator", F.floor(F.col("o_orderkey") / 2))
     return validate.ambiguous_events(a).select("o_orderkey", "violation")
@@ -339,8 +730,12 @@ def _(spark, d):
 @query(
     "check_levels",
     days="snapshot_date",
-    sql=_LEVELS.split(",\n    wide as")[0]
-    + """, v as (select stock_id, snapshot_date, case when count(*) < 17 then 'missing_level' when max(percent) > 100 then 'over_hundred_percent' end as violation from levels group by 1, 2)
+    sql=_LEVELS.split(
+        ",\n    wide as"
+    )[
+        0
+    ] + """, v as (select stock_id, snapshot_date, case when count(*) < 17 then 'missing_level' when max(percent) >
+    100 then 'over_hundred_percent' end as violation from levels group by 1, 2)
     select *, arg_max(violation is not null, stock_id::int) over (partition by snapshot_date) as truncated from v""",
 )
 def _(spark, d):
@@ -350,138 +745,323 @@ def _(spark, d):
     return found.select("stock_id", "snapshot_date", "violation", "truncated")
 
 
-@query("check_precision", """with x as (select case when (l_extendedprice * 1.5)::decimal(20,3) <> round((l_extendedprice * 1.5)::decimal(20,3), 2) then 'price_too_precise' when l_extendedprice * 1.5 >= 100000 then 'price_too_large' end as violation from (select l_extendedprice::decimal(20,2) as l_extendedprice from lineitem)) select violation, count(*) as n from x group by 1""")
+@query(
+    "check_precision",
+    """with x as (select case when (l_extendedprice * 1.5)::decimal(20,3) <> round((l_extendedprice *
+    1.5)::decimal(20,3), 2) then 'price_too_precise' when l_extendedprice * 1.5 >= 100000 then 'price_too_large' end
+    as violation from (select l_extendedprice::decimal(20,2) as l_extendedprice from lineitem)) select violation,
+    count(*) as n from x group by 1""",
+)
 def _(spark, d):
     p = (F.col("l_extendedprice").cast("decimal(20,2)") * F.expr("cast(1.5 as decimal(2,1))")).cast("decimal(20,3)")
-    x = table(spark, d, "lineitem").select(p.alias("price")).withColumn("violation", validate.precision_violation({"price": (5, 2)}))
+    x = table(spark, d, "lineitem").select(p.alias("price")).withColumn(
+        "violation", validate.precision_violation({"price": (5, 2)})
+    )
     return x.groupBy("violation").agg(F.count("*").alias("n"))
 
 
-@query("check_cross_source", f"""{with_('bars')}, a as (select *, date_trunc('month', trade_date)::date::varchar as file from bars), o as (select stock_id, trade_date, volume + case when volume % 61 = 0 then 1 else 0 end as v from bars where volume % 13 <> 0),
-    m as (select a.file, case when o.v is null then 'held_back' when o.v = a.volume then 'verified' else 'different' end as outcome from a left join o using (stock_id, trade_date)), b as (select distinct file from m where outcome = 'different')
-    select file, outcome, file in (select file from b) as file_quarantined, count(*) as n from m group by 1, 2""")
+@query(
+    "check_cross_source",
+    f"""{with_('bars')}, a as (select *, date_trunc('month', trade_date)::date::varchar as file from bars), o as
+    (select stock_id, trade_date, volume + case when volume % 61 = 0 then 1 else 0 end as v from bars where volume %
+    13 <> 0),
+    m as (select a.file, case when o.v is null then 'held_back' when o.v = a.volume then 'verified' else 'different'
+    end as outcome from a left join o using (stock_id, trade_date)), b as (select distinct file from m where outcome =
+    'different')
+    select file, outcome, file in (select file from b) as file_quarantined, count(*) as n from m group by 1, 2""",
+)
 def _(spark, d):
     b = bars(spark, d).withColumn("file", F.trunc("trade_date", "month").cast("string"))
-    other = b.where("volume % 13 <> 0").withColumn("volume", F.col("volume") + F.when(F.col("volume") % 61 == 0, 1).otherwise(0))
+    other = b.where("volume % 13 <> 0").withColumn(
+        "volume", F.col("volume") + F.when(F.col("volume") % 61 == 0, 1).otherwise(0)
+    )
     x = validate.cross_source_check(b, other, ["stock_id", "trade_date"], "volume", ["file"])
     return x.groupBy("file", "outcome", "file_quarantined").agg(F.count("*").alias("n"))
 
 
 def dim(spark):
-    return spark.sql("select cast(c as string) as code, case when c = 3 then date'2024-01-10' end as valid_from, case when c = 4 then date'2024-01-15' end as valid_to from (select explode(sequence(0, 4)) as c)")
+    return spark.sql(
+        """select cast(c as string) as code, case when c = 3 then date'2024-01-10' end as valid_from, case when c = 4
+    then date'2024-01-15' end as valid_to from (select explode(sequence(0, 4)) as c)"""
+    )
 
 
-@query("check_sweeps", days="trade_date", sql="""with s as (select distinct ts::date as trade_date, user_id::varchar as stock_id, (event_id % 6)::varchar as c from events), r as (select * from s where c <> '5')
-    select trade_date, stock_id, 'two_categories' as violation from r group by 1, 2 having count(distinct c) > 1 union select trade_date, stock_id, 'category_not_in_effect' from r where (c = '3' and trade_date < date '2024-01-10') or (c = '4' and trade_date >= date '2024-01-15')""")
+@query(
+    "check_sweeps",
+    days="trade_date",
+    sql="""with s as (select distinct ts::date as trade_date, user_id::varchar as stock_id, (event_id % 6)::varchar as
+    c from events), r as (select * from s where c <> '5')
+    select trade_date, stock_id, 'two_categories' as violation from r group by 1, 2 having count(distinct c) > 1 union
+    select trade_date, stock_id, 'category_not_in_effect' from r where (c = '3' and trade_date < date '2024-01-10') or
+    (c = '4' and trade_date >= date '2024-01-15')""",
+)
 def _(spark, d):
     e = table(spark, d, "events")
-    sweep = e.select(F.col("ts").cast("date").alias("trade_date"), F.col("user_id").cast("string").alias("stock_id"), (F.col("event_id") % 6).cast("string").alias("industry_code")).distinct()
+    sweep = e.select(
+        F.col("ts").cast("date").alias("trade_date"),
+        F.col("user_id").cast("string").alias("stock_id"),
+        (F.col("event_id") % 6).cast("string").alias("industry_code"),
+    ).distinct()
     return validate.sweep_violations(sweep, dim(spark), managed="5")
 
 
-@query("check_notices", """with c as (select event_id // 50 as doc, user_id::varchar as s, ts::date as d, event_id % 5 as a, (event_id // 5) % 5 as b from events), v as (select *, count(*) over (partition by doc, s) as n from c)
-    select case when n > 1 then 'duplicate_stock' when a = b then 'no_change' when (a = 3 and d - 1 < date '2024-01-10') or (a = 4 and d - 1 >= date '2024-01-15') then 'old_not_in_effect' when (b = 3 and d < date '2024-01-10') or (b = 4 and d >= date '2024-01-15') then 'new_not_in_effect' end as violation, count(*) as k from v group by 1""")
+@query(
+    "check_notices",
+    """with c as (select event_id // 50 as doc, user_id::varchar as s, ts::date as d, event_id % 5 as a, (event_id //
+    5) % 5 as b from events), v as (select *, count(*) over (partition by doc, s) as n from c)
+    select case when n > 1 then 'duplicate_stock' when a = b then 'no_change' when (a = 3 and d - 1 < date
+    '2024-01-10') or (a = 4 and d - 1 >= date '2024-01-15') then 'old_not_in_effect' when (b = 3 and d < date
+    '2024-01-10') or (b = 4 and d >= date '2024-01-15') then 'new_not_in_effect' end as violation, count(*) as k from
+    v group by 1""",
+)
 def _(spark, d):
-    e = table(spark, d, "events").select(F.floor(F.col("event_id") / 50).alias("document_number"), F.col("user_id").cast("string").alias("stock_id"), F.col("ts").cast("date").alias("effective_date"), (F.col("event_id") % 5).cast("string").alias("old_industry"), (F.floor(F.col("event_id") / 5) % 5).cast("string").alias("new_industry"))
+    e = table(spark, d, "events").select(
+        F.floor(F.col("event_id") / 50).alias("document_number"),
+        F.col("user_id").cast("string").alias("stock_id"),
+        F.col("ts").cast("date").alias("effective_date"),
+        (F.col("event_id") % 5).cast("string").alias("old_industry"),
+        (F.floor(F.col("event_id") / 5) % 5).cast("string").alias("new_industry"),
+    )
     return validate.notice_violations(e, dim(spark)).groupBy("violation").agg(F.count("*").alias("k"))
 
 
-@query("check_withdrawn_conflicts", """with o as (select o_custkey % 50 as document, o_orderkey % 400 as k, o_orderkey % 7 as m from orders), s as (select distinct document, k from o where m < 4), r as (select distinct document, k from o where m >= 3 and document % 2 = 0),
-    w as (select s.document, s.k from s where s.document in (select document from r) and (s.document, s.k) not in (select (document, k) from r)), c as (select r.document, r.k, s.document as held_by from r join s on s.k = r.k and s.document <> r.document)
-    select 'withdrawn' as kind, count(*) as n, sum(k)::bigint as keys from w union all select 'conflict', count(*), sum(k)::bigint from c""")
+@query(
+    "check_withdrawn_conflicts",
+    """with o as (select o_custkey % 50 as document, o_orderkey % 400 as k, o_orderkey % 7 as m from orders), s as
+    (select distinct document, k from o where m < 4), r as (select distinct document, k from o where m >= 3 and
+    document % 2 = 0),
+    w as (select s.document, s.k from s where s.document in (select document from r) and (s.document, s.k) not in
+    (select (document, k) from r)), c as (select r.document, r.k, s.document as held_by from r join s on s.k = r.k and
+    s.document <> r.document)
+    select 'withdrawn' as kind, count(*) as n, sum(k)::bigint as keys from w union all select 'conflict', count(*),
+    sum(k)::bigint from c""",
+)
 def _(spark, d):
-    o = orders(spark, d).select((F.col("o_custkey") % 50).alias("document"), (F.col("o_orderkey") % 400).alias("k"), (F.col("o_orderkey") % 7).alias("m"))
-    stored, reread = o.where("m < 4").select("document", "k").distinct(), o.where("m >= 3 and document % 2 = 0").select("document", "k").distinct()
-    w = validate.withdrawn_keys(stored, reread, "document", ["k"]).agg(F.lit("withdrawn").alias("kind"), F.count("*").alias("n"), F.sum("k").alias("keys"))
-    return w.unionByName(validate.conflicts(reread, stored, "document", ["k"]).agg(F.lit("conflict").alias("kind"), F.count("*").alias("n"), F.sum("k").alias("keys")))
+    o = orders(spark, d).select(
+        (F.col("o_custkey") % 50).alias("document"),
+        (F.col("o_orderkey") % 400).alias("k"),
+        (F.col("o_orderkey") % 7).alias("m"),
+    )
+    stored, reread = o.where("m < 4").select("document", "k").distinct(), o.where("m >= 3 and document % 2 = 0").select(
+        "document", "k"
+    ).distinct()
+    w = validate.withdrawn_keys(stored, reread, "document", ["k"]).agg(
+        F.lit("withdrawn").alias("kind"), F.count("*").alias("n"), F.sum("k").alias("keys")
+    )
+    return w.unionByName(
+        validate.conflicts(reread, stored, "document", ["k"]).agg(
+            F.lit("conflict").alias("kind"), F.count("*").alias("n"), F.sum("k").alias("keys")
+        )
+    )
 
 
-@query("check_facts_identity", f"""{with_('facts')}, x as (select report_id, statement, account_code, period_start, period_end, report_id % 17 = 0 as dim, case when report_id % 19 = 0 then null else value end as value from facts union all select report_id, statement, account_code, period_start, period_end, false, value from facts where report_id % 23 = 0),
-    p as (select report_id, statement, account_code, period_start, period_end, count(*) > 1 as dup, bool_or(dim) as dim, bool_or(value is null) as nan from x group by 1, 2, 3, 4, 5) select report_id, case when bool_or(dup) then 'duplicate_fact' when bool_or(dim) then 'dimensioned_fact' else 'non_numeric_fact' end as violation from p group by 1 having bool_or(dup) or bool_or(dim) or bool_or(nan)""")
+@query(
+    "check_facts_identity",
+    f"""{with_('facts')}, x as (select report_id, statement, account_code, period_start, period_end, report_id % 17 =
+    0 as dim, case when report_id % 19 = 0 then null else value end as value from facts union all select report_id,
+    statement, account_code, period_start, period_end, false, value from facts where report_id % 23 = 0),
+    p as (select report_id, statement, account_code, period_start, period_end, count(*) > 1 as dup, bool_or(dim) as
+    dim, bool_or(value is null) as nan from x group by 1, 2, 3, 4, 5) select report_id, case when bool_or(dup) then
+    'duplicate_fact' when bool_or(dim) then 'dimensioned_fact' else 'non_numeric_fact' end as violation from p group
+    by 1 having bool_or(dup) or bool_or(dim) or bool_or(nan)""",
+)
 def _(spark, d):
     f = facts(reports(spark, d)).withColumn("concept", F.col("account_code"))
     a = f.withColumn("dimensioned", F.col("report_id") % 17 == 0)
-    x = a.withColumn("value", F.when(F.col("report_id") % 19 != 0, F.col("value"))).unionByName(f.where("report_id % 23 = 0").withColumn("dimensioned", F.lit(False)))
+    x = a.withColumn("value", F.when(F.col("report_id") % 19 != 0, F.col("value"))).unionByName(
+        f.where("report_id % 23 = 0").withColumn("dimensioned", F.lit(False))
+    )
     return validate.fact_violations(x)
 
 
-@query("check_reason_tally", """select (user_id % 3)::varchar as dataset, event_type as status, case when event_id % 4 = 0 then 'late' end as reason_code, count(*) as n from events group by 1, 2, 3""")
+@query(
+    "check_reason_tally",
+    """select (user_id % 3)::varchar as dataset, event_type as status, case when event_id % 4 = 0 then 'late' end as
+    reason_code, count(*) as n from events group by 1, 2, 3""",
+)
 def _(spark, d):
-    e = table(spark, d, "events").select((F.col("user_id") % 3).cast("string").alias("dataset"), F.col("event_type").alias("status"), F.when(F.col("event_id") % 4 == 0, "late").alias("reason_code"))
+    e = table(spark, d, "events").select(
+        (F.col("user_id") % 3).cast("string").alias("dataset"),
+        F.col("event_type").alias("status"),
+        F.when(F.col("event_id") % 4 == 0, "late").alias("reason_code"),
+    )
     return validate.reason_tally(validate.require_known(e, "dataset", ["0", "1", "2"]), ["dataset", "status"])
 
 
-@query("check_paged_lists", """with o as (select o_custkey, row_number() over (partition by o_custkey order by o_orderkey) as position, o_orderkey, count(*) over (partition by o_custkey) + case when o_custkey % 10 = 0 then 1 else 0 end as declared from orders)
-    select o_custkey, count(*) = max(declared) as complete, bool_and(position > 2 or o_custkey % 7 <> 0 or position <> 2) as same_order from o group by 1""")
+@query(
+    "check_paged_lists",
+    """with o as (select o_custkey, row_number() over (partition by o_custkey order by o_orderkey) as position,
+    o_orderkey, count(*) over (partition by o_custkey) + case when o_custkey % 10 = 0 then 1 else 0 end as declared
+    from orders)
+    select o_custkey, count(*) = max(declared) as complete, bool_and(position > 2 or o_custkey % 7 <> 0 or position <>
+    2) as same_order from o group by 1""",
+)
 def _(spark, d):
     from pyspark.sql import Window
 
     w = Window.partitionBy("o_custkey").orderBy("o_orderkey")
-    o = orders(spark, d).select("o_custkey", "o_orderkey", F.row_number().over(w).alias("position"), (F.count("*").over(Window.partitionBy("o_custkey")) + F.when(F.col("o_custkey") % 10 == 0, 1).otherwise(0)).alias("declared_total"))
-    first = o.where("position <= 2").select("o_custkey", "position", (F.col("o_orderkey") + F.when((F.col("o_custkey") % 7 == 0) & (F.col("position") == 2), 1).otherwise(0)).alias("o_orderkey"))
+    o = orders(spark, d).select(
+        "o_custkey",
+        "o_orderkey",
+        F.row_number().over(w).alias("position"),
+        (
+            F.count("*").over(Window.partitionBy("o_custkey")) + F.when(F.col("o_custkey") % 10 == 0, 1).otherwise(0)
+        ).alias("declared_total"),
+    )
+    first = o.where("position <= 2").select(
+        "o_custkey",
+        "position",
+        (
+            F.col("o_orderkey") + F.when((F.col("o_custkey") % 7 == 0) & (F.col("position") == 2), 1).otherwise(0)
+        ).alias("o_orderkey"),
+    )
     return validate.paged_answer(o, first, ["o_custkey"], ["o_orderkey"])
 
 
-@query("check_label_order", days="day", sql="""select user_id, ts::date as day, list(event_type order by event_id) = ['view', 'click'] as as_expected from events group by 1, 2""")
+@query(
+    "check_label_order",
+    days="day",
+    sql="""select user_id, ts::date as day, list(event_type order by event_id) = ['view', 'click'] as as_expected from
+    events group by 1, 2""",
+)
 def _(spark, d):
     """All labels of a user's day, in order."""
-    e = table(spark, d, "events").select("user_id", F.col("ts").cast("date").alias("day"), F.col("event_id").alias("position"), F.col("event_type").alias("label"))
+    e = table(spark, d, "events").select(
+        "user_id",
+        F.col("ts").cast("date").alias("day"),
+        F.col("event_id").alias("position"),
+        F.col("event_type").alias("label"),
+    )
     return validate.label_order(e, ["user_id", "day"], ["view", "click"]).select("user_id", "day", "as_expected")
 
 
-@query("check_code_sets", """with a as (select distinct p_brand as b, p_size as c from part where p_partkey % 2 = 0), z as (select distinct p_brand as b, p_size as c from part where p_partkey % 2 = 1), n as (select o_custkey as g, count(*) = max(o_orderkey % 9 + 1) and count(*) < 0 as numbered from orders group by 1)
-    select b, c, 'first' as side from a where (b, c) not in (select (b, c) from z) union all select b, c, 'second' from z where (b, c) not in (select (b, c) from a)""".replace(", n as (select o_custkey as g, count(*) = max(o_orderkey % 9 + 1) and count(*) < 0 as numbered from orders group by 1)", ""))
+@query(
+    "check_code_sets",
+    """with a as (select distinct p_brand as b, p_size as c from part where p_partkey % 2 = 0),
+    z as (select distinct p_brand as b, p_size as c from part where p_partkey % 2 = 1)
+    select b, c, 'first' as side from a where (b, c) not in (select (b, c) from z)
+    union all select b, c, 'second' from z where (b, c) not in (select (b, c) from a)""",
+)
 def _(spark, d):
     p = table(spark, d, "part").withColumnsRenamed({"p_brand": "b", "p_size": "c"})
     return validate.code_set_difference(p.where("p_partkey % 2 = 0"), p.where("p_partkey % 2 = 1"), ["b"], "c")
 
 
-@query("check_section_numbers", """with o as (select o_custkey, row_number() over (partition by o_custkey order by o_orderkey) + case when o_custkey % 9 = 0 then 1 else 0 end as r, count(*) over (partition by o_custkey) as declared from orders) select o_custkey, o_custkey % 9 <> 0 as numbered from o group by 1""")
+@query(
+    "check_section_numbers",
+    """with o as (select o_custkey, row_number() over (partition by o_custkey order by o_orderkey) + case when
+    o_custkey % 9 = 0 then 1 else 0 end as r, count(*) over (partition by o_custkey) as declared from orders) select
+    o_custkey, o_custkey % 9 <> 0 as numbered from o group by 1""",
+)
 def _(spark, d):
     from pyspark.sql import Window
 
     w = Window.partitionBy("o_custkey")
-    o = orders(spark, d).select("o_custkey", (F.row_number().over(w.orderBy("o_orderkey")) + F.when(F.col("o_custkey") % 9 == 0, 1).otherwise(0)).alias("row_number"), F.count("*").over(w).alias("declared"))
+    o = orders(spark, d).select(
+        "o_custkey",
+        (
+            F.row_number().over(w.orderBy("o_orderkey")) + F.when(F.col("o_custkey") % 9 == 0, 1).otherwise(0)
+        ).alias("row_number"),
+        F.count("*").over(w).alias("declared"),
+    )
     return validate.section_numbering(o, ["o_custkey"])
 
 
-@query("check_report_gate", f"""{with_('facts')}, h as (select distinct report_id from facts) select report_id, case when report_id % 29 = 0 then 'identity_mismatch' when report_id % 31 = 0 then 'financial_industry_issuer' when report_id % 37 = 0 then 'outside_universe' when report_id % 41 = 0 then 'category_mismatch' when report_id % 3 = 0 then 'statement_missing' when report_id % 43 = 0 then 'row_without_code' end as violation from h""")
+@query(
+    "check_report_gate",
+    f"""{with_('facts')}, h as (select distinct report_id from facts) select report_id, case when report_id % 29 = 0
+    then 'identity_mismatch' when report_id % 31 = 0 then 'financial_industry_issuer' when report_id % 37 = 0 then
+    'outside_universe' when report_id % 41 = 0 then 'category_mismatch' when report_id % 3 = 0 then
+    'statement_missing' when report_id % 43 = 0 then 'row_without_code' end as violation from h""",
+)
 def _(spark, d):
     f = facts(reports(spark, d))
     k = F.col("report_id")
-    h = f.select("report_id").distinct().select("report_id", F.lit("1").alias("stock_id"), F.when(k % 29 == 0, "2").otherwise("1").alias("asked_stock_id"), F.when(k % 31 == 0, "bank").otherwise("steel").alias("sector"), F.when(k % 37 == 0, "emerging").otherwise("sii").alias("market"), F.lit("C").alias("category"), F.when(k % 41 == 0, "A").otherwise("C").alias("asked_category"))
-    rows = f.select("report_id", "statement", F.when(k % 43 != 0, F.col("account_code")).alias("account_code")).unionByName(f.where("report_id % 3 <> 0").select("report_id", F.lit("cash_flow").alias("statement"), F.lit("A").alias("account_code")))
+    h = f.select("report_id").distinct().select(
+        "report_id",
+        F.lit("1").alias("stock_id"),
+        F.when(k % 29 == 0, "2").otherwise("1").alias("asked_stock_id"),
+        F.when(k % 31 == 0, "bank").otherwise("steel").alias("sector"),
+        F.when(k % 37 == 0, "emerging").otherwise("sii").alias("market"),
+        F.lit("C").alias("category"),
+        F.when(k % 41 == 0, "A").otherwise("C").alias("asked_category"),
+    )
+    rows = f.select(
+        "report_id", "statement", F.when(k % 43 != 0, F.col("account_code")).alias("account_code")
+    ).unionByName(
+        f.where("report_id % 3 <> 0").select(
+            "report_id", F.lit("cash_flow").alias("statement"), F.lit("A").alias("account_code")
+        )
+    )
     return validate.report_gate(h, rows, ["bank"], ["sii", "otc"]).select("report_id", "violation")
 
 
-@query("append_needs_detail", f"""{with_('actions')}, one as (select * from actions qualify row_number() over (partition by stock_id, source, ex_date order by recorded_at desc, o_orderkey desc) = 1)
-    select count(*) as n, count(*) filter (retracted) as k from one where ex_date < date '1996-01-01' or close_before % 2 = 0""")
+@query(
+    "append_needs_detail",
+    f"""{with_('actions')}, one as (select * from actions qualify row_number() over (partition by stock_id, source,
+    ex_date order by recorded_at desc, o_orderkey desc) = 1)
+    select count(*) as n, count(*) filter (retracted) as k from one where ex_date < date '1996-01-01' or close_before
+    % 2 = 0""",
+)
 def _(spark, d):
     from tidemark.operators.pit import latest_per_key
 
     key = ["stock_id", "source", "ex_date"]
-    one = latest_per_key(actions(spark, d).withColumn("__b", F.struct("recorded_at", "o_orderkey")), key, "__b").drop("__b")
-    stored = one.where("ex_date >= date'1996-01-01'").withColumn("close_before", F.col("close_before") + F.when(F.col("close_before") % 2 == 0, 1).otherwise(0))
-    return append.needs_detail(one, stored, key, ["close_before"]).agg(F.count("*").alias("n"), F.count_if("retracted").alias("k"))
+    one = latest_per_key(
+        actions(spark, d).withColumn("__b", F.struct("recorded_at", "o_orderkey")), key, "__b"
+    ).drop("__b")
+    stored = one.where("ex_date >= date'1996-01-01'").withColumn(
+        "close_before", F.col("close_before") + F.when(F.col("close_before") % 2 == 0, 1).otherwise(0)
+    )
+    return append.needs_detail(one, stored, key, ["close_before"]).agg(
+        F.count("*").alias("n"), F.count_if("retracted").alias("k")
+    )
 
 
-@query("append_detail_completion", """select case when o_orderkey % 5 = 0 then 'detail_missing' when o_orderkey % 7 = 0 then 'identity_mismatch' end as violation, count(*) as n from orders group by 1""")
+@query(
+    "append_detail_completion",
+    """select case when o_orderkey % 5 = 0 then 'detail_missing' when o_orderkey % 7 = 0 then 'identity_mismatch' end
+    as violation, count(*) as n from orders group by 1""",
+)
 def _(spark, d):
     o = orders(spark, d).select(F.col("o_orderkey").alias("locator"), F.col("o_custkey").alias("code"))
-    detail = orders(spark, d).where("o_orderkey % 5 <> 0").select(F.col("o_orderkey").alias("locator"), (F.col("o_custkey") + F.when(F.col("o_orderkey") % 7 == 0, 1).otherwise(0)).alias("code"), F.col("o_totalprice").alias("cash"))
+    detail = orders(spark, d).where("o_orderkey % 5 <> 0").select(
+        F.col("o_orderkey").alias("locator"),
+        (F.col("o_custkey") + F.when(F.col("o_orderkey") % 7 == 0, 1).otherwise(0)).alias("code"),
+        F.col("o_totalprice").alias("cash"),
+    )
     return append.complete_with_detail(o, detail, "locator", "code").groupBy("violation").agg(F.count("*").alias("n"))
 
 
-@query("append_new_report_versions", f"""{with_('facts')}, old as (select * from reports where id < 50000000), new as (select id, stock_id, report_year, report_quarter from reports where id >= 50000000) select id from new where id % 3 >= 0""")
+@query(
+    "append_new_report_versions",
+    f"""{with_('facts')}, old as (select * from reports where id < 50000000), new as (select id, stock_id,
+    report_year, report_quarter from reports where id >= 50000000) select id from new where id % 3 >= 0""",
+)
 def _(spark, d):
     r = reports(spark, d)
-    prints = append.fact_fingerprints(facts(r), ["report_id"], ["statement", "account_code", "period_start", "period_end", "value"])
-    full = r.join(prints, r.id == prints.report_id).select("id", "stock_id", "report_year", "report_quarter", "recorded_at", "report_category", "fingerprint")
-    return append.new_report_versions(full.where("id >= 50000000"), full.where("id < 50000000"), ["stock_id", "report_year", "report_quarter"]).select("id")
+    prints = append.fact_fingerprints(
+        facts(r), ["report_id"], ["statement", "account_code", "period_start", "period_end", "value"]
+    )
+    full = r.join(prints, r.id == prints.report_id).select(
+        "id", "stock_id", "report_year", "report_quarter", "recorded_at", "report_category", "fingerprint"
+    )
+    return append.new_report_versions(
+        full.where("id >= 50000000"), full.where("id < 50000000"), ["stock_id", "report_year", "report_quarter"]
+    ).select("id")
 
 
-@query("universe_filter", days="trade_date", sql=f"""{with_('bars')} select stock_id, source, trade_date from bars where stock_id::int % 4 <> 0 and trade_date >= date '1996-01-01' and (stock_id::int % 4 <> 1 or trade_date < date '1999-01-01')""")
+@query(
+    "universe_filter",
+    days="trade_date",
+    sql=f"""{with_('bars')} select stock_id, source, trade_date from bars where stock_id::int % 4 <> 0 and trade_date
+    >= date '1996-01-01' and (stock_id::int % 4 <> 1 or trade_date < date '1999-01-01')""",
+)
 def _(spark, d):
     b = bars(spark, d)
-    spans = b.select("stock_id").distinct().where("cast(stock_id as int) % 4 <> 0").select("stock_id", F.lit("1996-01-01").cast("date").alias("listed_on"), F.when(F.col("stock_id").cast("int") % 4 == 1, F.lit("1999-01-01").cast("date")).alias("delisted_on"))
+    spans = b.select("stock_id").distinct().where("cast(stock_id as int) % 4 <> 0").select(
+        "stock_id",
+        F.lit("1996-01-01").cast("date").alias("listed_on"),
+        F.when(F.col("stock_id").cast("int") % 4 == 1, F.lit("1999-01-01").cast("date")).alias("delisted_on"),
+    )
     return append.in_universe(b, spans, "trade_date")[0].select(*KEY)

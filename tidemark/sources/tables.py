@@ -13,7 +13,9 @@ from pyspark.sql import functions as F
 from tidemark.datasets import dataset
 
 
-def read_table(spark: SparkSession, root: str, name: str, start: str | None = None, end: str | None = None) -> DataFrame:
+def read_table(
+    spark: SparkSession, root: str, name: str, start: str | None = None, end: str | None = None
+) -> DataFrame:
     """A dataset's rows with its key date in [start, end] (A1); the filter reaches the scan."""
     d = dataset(name)
     if start and end and start > end:
@@ -25,8 +27,8 @@ def read_table(spark: SparkSession, root: str, name: str, start: str | None = No
 
 
 def scratch_folder(spark: SparkSession, name: str) -> str:
-    """A fresh path under the folder that driver and executors share (``spark.checkpoint.dir``); on a local master without
-    one a temporary folder is set, on a cluster its absence is an error."""
+    """A fresh path under the folder that driver and executors share (``spark.checkpoint.dir``); on a local master
+    without one a temporary folder is set, on a cluster its absence is an error."""
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
         if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
@@ -41,8 +43,12 @@ def append_rows(rows: DataFrame, root: str, name: str, recorded_at: str, fetch_i
 
     Rows are clustered by the key date before the write, so files' date ranges are narrow and scans skip them."""
     d = dataset(name)
-    stamped = rows.withColumn("recorded_at", F.lit(recorded_at).cast("timestamp_ntz")).withColumn("fetch_id", F.lit(fetch_id))
-    stamped.select(*[F.col(f.name).cast(f.dataType) for f in d.schema.fields]).repartitionByRange(d.period).sortWithinPartitions(d.period).write.mode("append").parquet(f"{root}/{name}")
+    stamped = rows.withColumn("recorded_at", F.lit(recorded_at).cast("timestamp_ntz")).withColumn(
+        "fetch_id", F.lit(fetch_id)
+    )
+    stamped.select(
+        *[F.col(f.name).cast(f.dataType) for f in d.schema.fields]
+    ).repartitionByRange(d.period).sortWithinPartitions(d.period).write.mode("append").parquet(f"{root}/{name}")
 
 
 def overwrite_series(rows: DataFrame, path: str, partition: str) -> None:
@@ -50,14 +56,19 @@ def overwrite_series(rows: DataFrame, path: str, partition: str) -> None:
     rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(path)
 
 
-def upsert_reference(stored: DataFrame, incoming: DataFrame, keys: Sequence[str], values: Sequence[str], provenance: str = "fetch_id") -> DataFrame:
-    """The reference table after an update on key (A15): the provenance column moves only if a value changed, null-safely."""
+def upsert_reference(
+    stored: DataFrame, incoming: DataFrame, keys: Sequence[str], values: Sequence[str], provenance: str = "fetch_id"
+) -> DataFrame:
+    """The reference table after an update on key (A15): the provenance column moves only if a value changed,
+    null-safely."""
     old = stored.select(*keys, F.struct(*values, provenance).alias("__old"))
     new = incoming.select(*keys, F.struct(*values, provenance).alias("__new"))
     changed = F.lit(False)
     for v in values:
         changed = changed | ~F.col(f"__old.{v}").eqNullSafe(F.col(f"__new.{v}"))
-    row = F.when(F.col("__new").isNull(), F.col("__old")).when(F.col("__old").isNull() | changed, F.col("__new")).otherwise(F.col("__old"))
+    row = F.when(F.col("__new").isNull(), F.col("__old")).when(
+        F.col("__old").isNull() | changed, F.col("__new")
+    ).otherwise(F.col("__old"))
     return old.join(new, list(keys), "full").withColumn("__row", row).select(*keys, "__row.*")
 
 
@@ -68,8 +79,12 @@ def export_json(df: DataFrame) -> DataFrame:
         if kind in ("double", "float"):
             c = F.col(name)
             odd = F.isnan(c) | (F.abs(c) == float("inf"))
-            out = out.withColumn(name, F.when(~odd | c.isNull(), c).otherwise(F.raise_error(F.lit(f"{name} is not finite")).cast(kind)))
-    return out.select(F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false", "dateFormat": "yyyy-MM-dd"}).alias("json"))
+            out = out.withColumn(
+                name, F.when(~odd | c.isNull(), c).otherwise(F.raise_error(F.lit(f"{name} is not finite")).cast(kind))
+            )
+    return out.select(
+        F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false", "dateFormat": "yyyy-MM-dd"}).alias("json")
+    )
 
 
 def keep_listed(rows: DataFrame, allowed: DataFrame, keys: Sequence[str] = ("source", "index_name")) -> DataFrame:
@@ -78,16 +93,29 @@ def keep_listed(rows: DataFrame, allowed: DataFrame, keys: Sequence[str] = ("sou
 
 
 def content_addressed(raw: DataFrame, store: DataFrame, content: str = "content") -> DataFrame:
-    """Each payload's digest and whether storing it would create something (A11): new bytes, counted once however often they come."""
-    hashed = raw.withColumn("sha256", F.sha2(F.col(content).cast("binary"), 256)).withColumn("byte_size", F.octet_length(content))
+    """Each payload's digest and whether storing it would create something (A11): new bytes, counted once however
+    often they come."""
+    hashed = raw.withColumn("sha256", F.sha2(F.col(content).cast("binary"), 256)).withColumn(
+        "byte_size", F.octet_length(content)
+    )
     known = store.select("sha256").distinct().withColumn("__k", F.lit(True))
     per = hashed.groupBy("sha256").agg(F.first("byte_size").alias("byte_size"), F.count("*").alias("puts"))
-    return per.join(known, "sha256", "left").select("sha256", "byte_size", "puts", F.col("__k").isNull().alias("created"))
+    return per.join(known, "sha256", "left").select(
+        "sha256", "byte_size", "puts", F.col("__k").isNull().alias("created")
+    )
 
 
 def verify_content(store: DataFrame, log: DataFrame, content: str = "content") -> DataFrame:
     """Violations of recorded size or digest against the stored bytes."""
-    have = store.select(F.col("resource_key"), F.sha2(F.col(content).cast("binary"), 256).alias("__sha"), F.octet_length(content).alias("__size"))
+    have = store.select(
+        F.col("resource_key"),
+        F.sha2(F.col(content).cast("binary"), 256).alias("__sha"),
+        F.octet_length(content).alias("__size"),
+    )
     j = log.join(have, "resource_key", "left")
-    reason = F.when(F.col("__sha").isNull(), "missing").when(F.col("__size") != F.col("byte_size"), "size_differs").when(F.col("__sha") != F.col("sha256"), "digest_differs")
+    reason = F.when(F.col("__sha").isNull(), "missing").when(
+        F.col("__size") != F.col("byte_size"), "size_differs"
+    ).when(
+        F.col("__sha") != F.col("sha256"), "digest_differs"
+    )
     return j.withColumn("violation", reason).where("violation is not null").drop("__sha", "__size")
