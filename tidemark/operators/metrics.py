@@ -153,21 +153,21 @@ def technical_panel(bars: DataFrame, series: Sequence[str] = SERIES, date: str =
 def streaks(
     rows: DataFrame, columns: Sequence[str], series: Sequence[str] = SERIES, date: str = "trade_date"
 ) -> DataFrame:
-    """Signed run length of each column's sign; null and zero are 0 and restart."""
+    """Signed run length of each column's sign; null and zero are 0 and restart.
+
+    A run's length is the row's number less that of the run's first row plus one, so one sort of the series
+    serves all columns.
+    """
     w = Window.partitionBy(*series).orderBy(date)
-    out = rows
+    run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    out = rows.withColumn("__i", F.row_number().over(w))
     for c in columns:
         sign = F.coalesce(F.signum(F.col(c).cast("double")), F.lit(0.0)).cast("int")
-        out = out.withColumn(f"__{c}_s", sign).withColumn(
-            f"__{c}_n",
-            F.sum(F.when(F.col(f"__{c}_s") != F.coalesce(F.lag(f"__{c}_s").over(w), F.lit(9)), 1).otherwise(0)).over(w),
-        )
+        out = out.withColumn(f"__{c}_s", sign).withColumn(f"__{c}_p", F.lag(sign, 1, 9).over(w))
     for c in columns:
-        run = Window.partitionBy(*series, f"__{c}_n").orderBy(date)
-        out = out.withColumn(
-            f"{c}_streak_days", F.col(f"__{c}_s") * F.row_number().over(run)
-        ).drop(f"__{c}_s", f"__{c}_n")
-    return out
+        begins = F.max(F.when(F.col(f"__{c}_s") != F.col(f"__{c}_p"), F.col("__i"))).over(run)
+        out = out.withColumn(f"{c}_streak_days", F.col(f"__{c}_s") * (F.col("__i") - begins + 1))
+    return out.drop("__i", *[f"__{c}_{x}" for c in columns for x in "sp"])
 
 
 def traded_axis(flows: DataFrame, bars: DataFrame, sources: DataFrame) -> DataFrame:

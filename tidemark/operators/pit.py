@@ -118,6 +118,21 @@ def derived_available_at(
     ).drop("late_at", "__row")
 
 
+def derived_history(
+    available: DataFrame, keys: Sequence[str], series: Sequence[str], date: str, rule: Rule
+) -> DataFrame:
+    """Keys of ``available`` with the ``available_at`` of rows derived from the history up to their date.
+
+    For datasets whose rows are the keys of their one input: keys, their late corrections and the running maximum come
+    from one pass over the versions."""
+    per_key = available.groupBy(*keys).agg(
+        F.count("*").alias("__n"), F.max_by("available_at", "recorded_at").alias("__late")
+    )
+    w = Window.partitionBy(*series).orderBy(date).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    late = F.max(F.when(F.col("__n") > 1, F.col("__late"))).over(w)
+    return per_key.select(*keys, F.greatest(rule(F.col(date)), late).alias("available_at"))
+
+
 def rolling_segments(available: DataFrame, series: Sequence[str], date: str, rule: Rule) -> DataFrame:
     """Dates of each series cut where a correction of an earlier date became public between two dates' own
     release instants (E16): (series, date, segment).

@@ -196,8 +196,7 @@ _DERIVED = """, late as (select stock_id, source, trade_date, arg_max(available_
     left join late using (stock_id, source, trade_date)""",
 )
 def _(spark, d):
-    a = available(spark, d)
-    return pit.derived_available_at(a.select(*KEY).distinct(), pit.late_keys(a, KEY), SERIES, "trade_date", DAILY)
+    return pit.derived_history(available(spark, d), KEY, SERIES, "trade_date", DAILY)
 
 
 @query(
