@@ -312,13 +312,67 @@ def periods(spark, d):
     )
 
 
-@query("span_category_periods")
+#: The periods by plain joins and windows, as one instant sees them.
+_PERIODS = f"""{_ANCHOR}, {_CHG},
+    cat as (select c::varchar as code, m as market, case when c = 3 then date '2024-01-10' end as valid_from,
+        case when c = 4 then date '2024-01-20' end as valid_to, case when c = 2 then date '2024-01-12' end as renamed_on
+        from range(5) t(c), (values ('sii'), ('otc')) u(m)),
+    inside as (select s.stock_id, s.market, s.listed_on as a, s.delisted_on as z, v.effective_date as e, v.old_industry,
+        v.new_industry, v.recorded_at, v.available_at, v.available_at <= timestamp '2024-01-22' as public
+        from spans s join cv v using (stock_id) where v.recorded_at <= timestamp '2024-01-25'
+        and (listed_on is null or effective_date >= listed_on) and (delisted_on is null or effective_date < delisted_on)),
+    days as (select stock_id, market, a, z, e, arg_max(new_industry, recorded_at) filter (public) as said,
+        arg_max(old_industry, recorded_at) filter (public) as was, arg_max(available_at, recorded_at) filter (public) as said_at,
+        arg_min(old_industry, recorded_at) as first_was, row_number() over (partition by stock_id, market, a, z order by e) as k
+        from inside group by 1, 2, 3, 4, 5),
+    drafts as (
+        select stock_id, market, a, z, 0 as n, a as since, coalesce(was, first_was) as code, 'before_change' as basis,
+            coalesce(a::timestamp - interval 8 hour, timestamp '1900-01-01') as public_at from days where k = 1
+        union all select stock_id, market, a, z, k, e, said, 'change', said_at from days where said is not null
+        union all select stock_id, market, listed_on, delisted_on, 0, listed_on, anchor_code, 'anchor',
+            coalesce(listed_on::timestamp - interval 8 hour, timestamp '1900-01-01') from anc x where not exists (
+            select 1 from days d where d.stock_id = x.stock_id and d.market = x.market
+            and d.a is not distinct from x.listed_on and d.z is not distinct from x.delisted_on)),
+    followed as (select *, lead(since) over (partition by stock_id, market, a, z order by n) as next from drafts),
+    named as (select f.*, coalesce(next, z) as until, valid_from, valid_to, renamed_on,
+        case when next is null then z::timestamp - interval 8 hour end as ended
+        from followed f left join cat using (code, market)),
+    clipped as (select stock_id, market, a, z, n, code, basis, renamed_on,
+        case when late then valid_from else since end as since,
+        case when late then greatest(public_at, valid_from::timestamp - interval 8 hour) else public_at end as public_at,
+        case when early then valid_to else until end as until,
+        case when early then timestamp '2024-01-05' else ended end as ended
+        from (select *, valid_from is not null and (since is null or since < valid_from) as late,
+            valid_to is not null and (until is null or valid_to < until) as early from named)),
+    marked as (select *, renamed_on is not null and (since is null or since < renamed_on)
+        and (until is null or renamed_on < until) as cut from clipped where until is null or since is null or since < until),
+    pieces as (
+        select stock_id, market, a, z, n, code, since, until, basis, public_at, ended from marked where not cut
+        union all select stock_id, market, a, z, n, code, since, renamed_on, basis, public_at, timestamp '2024-01-05' from marked where cut
+        union all select stock_id, market, a, z, n, code, renamed_on, until, 'rename', greatest(public_at, timestamp '2024-01-05'), ended
+            from marked where cut),
+    seen as (select *, lead(since) over (partition by stock_id, market, a, z order by n, since nulls first) as next,
+        until is not null and coalesce(ended <= timestamp '2024-01-22', false) as ceased from pieces
+        where public_at <= timestamp '2024-01-22'),
+    periods as (select stock_id, market, code as industry_code, basis, since as effective_from,
+        case when next is not null then case when ceased and until < next then until else next end
+            when ceased then until end as effective_to, public_at as available_at from seen)"""
+
+
+@query(
+    "span_category_periods", days="effective_from effective_to", sql=f"{_PERIODS} select * from periods"
+)
 def category_periods(spark, d):
     """Category periods as one instant sees them; scenarios with hand-made answers are in the tests."""
     return periods(spark, d)
 
 
-@query("span_overlap_and_last")
+@query(
+    "span_overlap_and_last",
+    f"""{_PERIODS} select basis, count(*) as n from periods where (effective_from is null or effective_from <= date '2024-01-21')
+        and (effective_to is null or effective_to > date '2024-01-08') group by 1
+    union all select 'last_known', count(*) from (select stock_id from periods group by 1 having count(*) = count(effective_to))""",
+)
 def overlap_and_last(spark, d):
     """Periods that overlap a fortnight, and the last category of stocks without a current one."""
     p = periods(spark, d)
