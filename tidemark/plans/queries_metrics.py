@@ -87,17 +87,23 @@ _RSI = f"""{with_('bars').replace('with ', 'with recursive ', 1)}, y as material
     from r"""
 #: The whole panel: windows, exponential means and RSI by their own queries, side by side.
 PANEL_SQL = f"""select a.stock_id, a.source, a.trade_date,
-    {', '.join(f'round(a.{v}ma{n}, 4) as {v}ma{n}' for v in ('', 'v') for n in metrics.WINDOWS)}, b.k, b.d, c.rsi6,
+    {', '.join(f'a.{v}ma{n}' for v in ('', 'v') for n in metrics.WINDOWS)}, b.k, b.d, c.rsi6,
     c.rsi12, b.macd_dif, b.macd_dea, b.macd_hist, e.bb_upper, e.bb_middle, e.bb_lower
     from ({MOVING_SQL}) a join ({KD_SQL}) b using (stock_id, source, trade_date) join ({_RSI}) c using (stock_id,
     source, trade_date) join ({BANDS_SQL}) e using (stock_id, source, trade_date)"""
 
 
+def panel_columns():
+    """The metrics of a panel, averages to six places (where no tie of theirs lies) and the others to four."""
+    none = F.lit(None).cast("double")
+    return [F.round(F.nanvl(m, none), 6 if "ma" in m[:3] and m[-1].isdigit() else 4).alias(m) for m in metrics.METRICS]
+
+
 @query("metric_technical_panel", days="trade_date", sql=PANEL_SQL)
 def technical_panel(spark, d):
     """All 22 metrics of every bar."""
     panel = metrics.technical_panel(bars(spark, d))
-    return panel.select(*KEY, *[F.round(F.nanvl(m, F.lit(None).cast("double")), 4).alias(m) for m in metrics.METRICS])
+    return panel.select(*KEY, *panel_columns())
 
 
 STREAKS_SQL = f"""{with_('flows')}, x as (select *, coalesce(sign(net), 0) as s from flows where volume > 0), y as

@@ -11,6 +11,7 @@ from tidemark.functions import instants
 from tidemark.datasets import Dataset, dataset
 from tidemark.operators import append, derived, metrics, pit, reads, rolling
 from tidemark.plans.panels import actions, facts, reports, table, versions, with_
+from tidemark.plans.queries_metrics import panel_columns
 from tidemark.plans.registry import query
 from tidemark.sources import tables
 
@@ -266,7 +267,7 @@ _ROLLING = f"""{with_('available')}, cut as (select distinct stock_id, source, t
         {_along("ch", "{'g': greatest(x, 0), 'l': greatest(-x, 0)}", "{'g': a.g * 11 / 12 + x.g, 'l': a.l * 11 / 12 + x.l}")}
         as r12 from l)
     select stock_id, source, trade_date,
-    {', '.join(f"round(case when n >= {k} then list_sum({c}[-{k}:])::double / {k} end, 4) as {p}ma{k}" for p, c in (('', 'c'), ('v', 'v')) for k in metrics.WINDOWS)},
+    {', '.join(f"round(case when n >= {k} then list_sum({c}[-{k}:])::double / {k} end, 6) as {p}ma{k}" for p, c in (('', 'c'), ('v', 'v')) for k in metrics.WINDOWS)},
     round(kd.k, 4) as k, round(kd.d, 4) as d,
     {', '.join(f"round(case when n > {k} and r{k}.g + r{k}.l > 0 then 100 * r{k}.g / (r{k}.g + r{k}.l) end, 4) as rsi{k}" for k in (6, 12))},
     round(macd.f - macd.s, 4) as macd_dif, round(macd.e, 4) as macd_dea, round(macd.f - macd.s - macd.e, 4) as
@@ -280,7 +281,7 @@ def _(spark, d):
     """All 22 metrics of every date as the market saw them at its own release instant."""
     rows = available(spark, d).withColumn("high", F.col("close") + 1).withColumn("low", F.col("close") - 1)
     found = rolling.rolling_panel(rows, DAILY)
-    return found.select(*KEY, *[F.round(F.nanvl(m, F.lit(None).cast("double")), 4).alias(m) for m in metrics.METRICS])
+    return found.select(*KEY, *panel_columns())
 
 
 @query(
