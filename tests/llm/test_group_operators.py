@@ -315,3 +315,41 @@ def test_pipeline_equals_brute_force(spark, tmp_path):
     for _, f in corpus_pipeline.STAGES[:-1]:
         stage, none = f(spark, stage, str(tmp_path)), f(spark, none, str(tmp_path))
         assert stage.columns == docs.columns == none.columns and none.count() == 0
+
+
+def test_components_with_hubs(spark, monkeypatch):
+    """Hubs take their own way through the rounds: same components whatever counts as a hub."""
+    from tidemark.llm import components
+
+    monkeypatch.setattr(components, "HUB_EDGES", 5)
+    edges = [(i + 1, i) for i in range(15)] + [(200 + i, 100) for i in range(40)] + [(300 + i, 250) for i in range(30)] + [(250, 100)]
+    got = {x.node: x.root for x in connected_components(spark.createDataFrame(edges, "a bigint, b bigint")).collect()}
+    assert got == plain_components(edges)
+
+
+def test_links_where_crowded_variants_are_many(spark, monkeypatch):
+    """Beyond the bound of a broadcast list the same links come by a merge join."""
+    from tidemark.llm import common
+
+    r = random.Random(2)
+    fps = {7, 1 << 62} | {7 ^ (1 << r.randrange(64)) for _ in range(20)} | {7 ^ (1 << r.randrange(64)) ^ (1 << r.randrange(64)) for _ in range(40)}
+    table = spark.createDataFrame([(x - (1 << 64) if x >> 63 else x,) for x in sorted(fps)], "fp bigint")
+    few = {(x.a, x.b) for x in simhash.fingerprint_links(table).collect()}
+    monkeypatch.setattr(common, "BROADCAST_IDS", 3)
+    assert {(x.a, x.b) for x in simhash.fingerprint_links(table).collect()} == few and few
+
+
+def test_shared_folder_on_a_cluster():
+    """Without a shared folder only a local master may make one."""
+    from types import SimpleNamespace
+
+    from tidemark.llm.common import shared_folder
+
+    def session(master, base):
+        context = SimpleNamespace(master=master, getCheckpointDir=lambda: None)
+        return SimpleNamespace(conf=SimpleNamespace(get=lambda k, d: base), sparkContext=context)
+
+    for master in ("spark://host:7077", "yarn", "local-cluster[2,1,1024]"):
+        with pytest.raises(ValueError, match="checkpoint"):
+            shared_folder(session(master, None), "x")
+    assert shared_folder(session("yarn", "hdfs://a/b/"), "x").startswith("hdfs://a/b/x-")

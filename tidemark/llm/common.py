@@ -45,14 +45,22 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def spread(df: DataFrame, rows: int, *keys: str) -> DataFrame:
+#: Partitions that a table is spread over at most.
+MOST_PARTITIONS = 20_000
+
+
+def spread(df: DataFrame, rows: int) -> DataFrame:
     """A written table ``df`` over a number of partitions that follows its row count: about ``rows`` rows each.
 
     For narrow rows that later work widens: adaptive execution judges partitions by their bytes and would
     leave them in a few tasks, but keeps a number that is asked for.
     """
-    n = max(1, math.ceil(df.count() / rows))
-    return df.repartition(n, *keys)
+    return df.repartition(min(max(1, math.ceil(df.count() / rows)), MOST_PARTITIONS))
+
+
+def listed(ids: DataFrame) -> DataFrame:
+    """Written rows of a few numbers as the small side of a join: broadcast up to ``BROADCAST_IDS`` rows, beyond it merged."""
+    return F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids.hint("merge")
 
 
 def text_udf(make: Callable[[], Callable[[list], pa.Array]], schema: str):

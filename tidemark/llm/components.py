@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import written
 
 
-#: Hubs at most: nodes with more than a ``HUBS``-th of all edge ends. There can't be more of them.
+#: A node of more edges than this is a hub.
+HUB_EDGES = 100_000
+#: Hubs at most: a hub has more than a ``HUBS``-th of all edge ends, so there can't be more of them.
 HUBS = 1_000
 
 
@@ -18,9 +20,11 @@ def _with_least(edges: DataFrame, least: DataFrame, ends: int) -> DataFrame:
     The edges of hubs are not shuffled: hubs are few by definition (see ``HUBS``) and their rows are broadcast; the
     edges of all other nodes are merge-joined, none of which has more than a small share of them.
     """
-    hub = F.col("n") > max(ends / HUBS, 1.0)
-    hubs = F.broadcast(least.where(hub).select("a", "m"))
+    hub = F.col("n") > max(ends / HUBS, HUB_EDGES)
     rest = least.where(~hub).select("a", "m").hint("merge")
+    if least.where(hub).isEmpty():
+        return edges.join(rest, "a")
+    hubs = F.broadcast(least.where(hub).select("a", "m"))
     return edges.join(hubs, "a").unionByName(edges.join(hubs, "a", "left_anti").join(rest, "a"))
 
 

@@ -20,13 +20,13 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import ASCII_LOWER, BROADCAST_IDS, spread, struct_array, text_udf, written
+from tidemark.llm.common import ASCII_LOWER, listed, spread, struct_array, text_udf, written
 from tidemark.llm.components import connected_components
 
 BITS, SEGMENTS, MAX_DISTANCE, SHINGLE, SEED = 64, 2, 2, 3, 42
 SEGMENT_BITS = BITS // SEGMENTS
 #: Fingerprints that a task expands into 64 variants each.
-FINGERPRINTS_A_TASK = 50_000
+FINGERPRINTS_A_TASK = 16_000
 
 
 def simhash(text: str | None, shingle: int = SHINGLE) -> int:
@@ -79,8 +79,8 @@ def fingerprint_links(fps: DataFrame) -> DataFrame:
     "two or fewer bits differ". ``fps`` (a written table) has one column ``fp`` without repeats.
 
     Fingerprints are dealt by number before they are expanded. Variants are counted with a map-side combine, so
-    one that many fingerprints share isn't gathered; those that share a crowded one are found by a merge join, whose
-    large side adaptive execution splits where a variant is hot. Nothing here is broadcast.
+    one that many fingerprints share isn't gathered; those that share a crowded one are found where they lie, by the
+    list of crowded variants if it is short, else by a merge join that adaptive execution splits where a variant is hot.
     """
     variants = _variants(spread(fps, FINGERPRINTS_A_TASK))
     counted = variants.groupBy("key").agg(F.count("*").alias("n"), F.min("fp").alias("b"), F.max("fp").alias("a"))
@@ -88,9 +88,7 @@ def fingerprint_links(fps: DataFrame) -> DataFrame:
     near = F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= MAX_DISTANCE
     pairs = shared.where("n = 2").where(near).select("a", "b")
     keys = shared.where("n > 2").select("key")
-    if keys.isEmpty():
-        return pairs.distinct()
-    crowded = written(variants.join(keys.hint("merge"), "key", "left_semi").select("fp").distinct(), "simhash-crowded")
+    crowded = written(variants.join(listed(keys), "key", "left_semi").select("fp").distinct(), "simhash-crowded")
     centres = _centres(spread(crowded, FINGERPRINTS_A_TASK))
     least = centres.groupBy("centre").agg(F.min("fp").alias("b"), F.count("*").alias("n")).where("n > 1")
     stars = centres.join(least.select("centre", "b").hint("merge"), "centre").where("fp > b")
@@ -147,9 +145,6 @@ def keep_one(docs: DataFrame, classes: DataFrame, id_col: str, text_col: str) ->
     again = counted.where("stays and n > 1").select(F.col("id").alias("__id"), F.col("text_hash").alias("__hash"))
     same = docs[id_col].eqNullSafe(F.col("__id")) & (F.xxhash64(docs[text_col]) == F.col("__hash"))
 
-    def listed(ids: DataFrame) -> DataFrame:
-        return F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids.hint("merge")
-
     kept = docs.join(listed(gone), same, "left_anti")
     if again.isEmpty():
         return kept
