@@ -19,8 +19,9 @@ from pyspark.sql import types as T
 
 from tidemark.operators.metrics import METRICS, NEUTRAL_RSV, SERIES, WINDOWS
 
-#: Decimal places that moving averages are summed with.
-SCALE = 1_000_000
+NAN = float("nan")
+#: Parts of one that averages are summed in, as whole numbers.
+UNITS = {"close": 1_000_000, "volume": 1}
 
 
 class RunningMean:
@@ -28,7 +29,7 @@ class RunningMean:
 
     def __init__(self, n: int, alpha: float, adjust: bool, min_periods: int):
         self.keep, self.alpha, self.adjust, self.least = 1 - alpha, alpha, adjust, min_periods
-        self.mean, self.weight, self.seen = np.full(n + 1, np.nan), np.ones(n + 1), np.zeros(n + 1, np.int64)
+        self.mean, self.weight, self.seen = [NAN] * (n + 1), [1.0] * (n + 1), [0] * (n + 1)
 
     def step(self, i: int, value: float) -> float:
         """Take the value of place ``i`` in; the mean after it, nan below the least number of values."""
@@ -45,23 +46,20 @@ class RunningMean:
             mean, weight = value, 1.0
         seen += known
         self.mean[i + 1], self.weight[i + 1], self.seen[i + 1] = mean, weight, seen
-        return mean if seen >= self.least else np.nan
+        return mean if seen >= self.least else NAN
 
 
 class Scan:
     """The visible values of one series of ``n`` dates and what is computed along them."""
 
     def __init__(self, n: int):
-        self.high, self.low, self.close, self.volume = (np.full(n, np.nan) for _ in range(4))
-        self.recorded = np.full(n, np.iinfo(np.int64).min)
-        self.rsv, self.k = np.full(n, NEUTRAL_RSV), np.full(n, np.nan)
+        self.high, self.low, self.close, self.volume = ([NAN] * n for _ in range(4))
+        self.recorded = [-(1 << 63)] * n
         mean = lambda alpha, adjust=False, least=1: RunningMean(n, alpha, adjust, least)
-        self.means = {
-            "k": mean(1 / 3), "d": mean(1 / 3), "fast": mean(2 / 13), "slow": mean(2 / 27), "dea": mean(2 / 10)
-        }
-        self.rsi = {p: (mean(1 / p, True, p), mean(1 / p, True, p)) for p in (6, 12)}
-        self.sums = {c: np.zeros(n + 1, np.int64) for c in ("close", "volume")}
-        self.counts = {c: np.zeros(n + 1, np.int64) for c in ("close", "volume")}
+        self.k, self.d, self.fast, self.slow, self.dea = (mean(a) for a in (1 / 3, 1 / 3, 2 / 13, 2 / 27, 2 / 10))
+        self.rsi = [(f"rsi{p}", mean(1 / p, True, p), mean(1 / p, True, p)) for p in (6, 12)]
+        #: Running sums, as whole numbers, and counts of the values that are there.
+        self.sums, self.counts = {c: [0] * (n + 1) for c in UNITS}, {c: [0] * (n + 1) for c in UNITS}
         self.last: dict[str, float] = {}
 
     def put(self, i: int, recorded: int, values: Sequence[float]) -> bool:
@@ -72,41 +70,36 @@ class Scan:
         self.high[i], self.low[i], self.close[i], self.volume[i] = values
         return True
 
-    def advance(self, start: int, end: int) -> None:
-        """Bring the states of the places ``start`` to ``end`` up to date."""
-        for c, values, scale in (("close", self.close, SCALE), ("volume", self.volume, 1)):
-            part = values[start : end + 1]
-            whole = np.rint(np.nan_to_num(part) * scale).astype(np.int64)
-            self.sums[c][start + 1 : end + 2] = self.sums[c][start] + np.cumsum(whole)
-            self.counts[c][start + 1 : end + 2] = self.counts[c][start] + np.cumsum(part == part)
-        for i in range(start, end + 1):
-            self.step(i)
-
     def step(self, i: int) -> None:
-        close, means = self.close[i], self.means
+        """Bring the states of place ``i`` up to date, those before it being so."""
+        close = self.close[i]
+        for c, value in (("close", close), ("volume", self.volume[i])):
+            known = value == value
+            self.sums[c][i + 1] = self.sums[c][i] + (round(value * UNITS[c]) if known else 0)
+            self.counts[c][i + 1] = self.counts[c][i] + known
         rsv = NEUTRAL_RSV
         if i >= 8 and close == close:
-            high, low = self.high[i - 8 : i + 1].max(), self.low[i - 8 : i + 1].min()  # nan if one is missing
-            if high > low:
+            highs, lows = self.high[i - 8 : i + 1], self.low[i - 8 : i + 1]
+            total = sum(highs) + sum(lows)
+            if total == total and (high := max(highs)) > (low := min(lows)):
                 rsv = (close - low) / (high - low) * 100
-        k = means["k"].step(i, rsv)
-        fast, slow = means["fast"].step(i, close), means["slow"].step(i, close)
-        dif = fast - slow
-        dea = means["dea"].step(i, dif)
-        change = close - self.close[i - 1] if i else np.nan
-        self.last = {"k": k, "d": means["d"].step(i, k), "macd_dif": dif, "macd_dea": dea, "macd_hist": dif - dea}
-        for p, (up, down) in self.rsi.items():
-            gain = up.step(i, max(change, 0.0) if change == change else np.nan)
-            loss = down.step(i, max(-change, 0.0) if change == change else np.nan)
-            value = np.nan
+        k = self.k.step(i, rsv)
+        dif = self.fast.step(i, close) - self.slow.step(i, close)
+        dea = self.dea.step(i, dif)
+        self.last = {"k": k, "d": self.d.step(i, k), "macd_dif": dif, "macd_dea": dea, "macd_hist": dif - dea}
+        change = close - self.close[i - 1] if i else NAN
+        rise, fall = (max(change, 0.0), max(-change, 0.0)) if change == change else (NAN, NAN)
+        for name, up, down in self.rsi:
+            gain, loss = up.step(i, rise), down.step(i, fall)
+            value = NAN
             if gain == gain and loss == loss and (gain or loss):
                 value = 100 - 100 / (1 + gain / loss) if loss else 100.0
-            self.last[f"rsi{p}"] = value
+            self.last[name] = value
 
     def mean_of_last(self, c: str, i: int, n: int) -> float:
         if i + 1 < n or self.counts[c][i + 1] - self.counts[c][i + 1 - n] < n:
-            return np.nan
-        return (self.sums[c][i + 1] - self.sums[c][i + 1 - n]) / (SCALE if c == "close" else 1) / n
+            return NAN
+        return (self.sums[c][i + 1] - self.sums[c][i + 1 - n]) / UNITS[c] / n
 
     def row(self, i: int) -> list[float]:
         """The panel of place ``i``, whose states are the last computed."""
@@ -114,7 +107,7 @@ class Scan:
         for n in WINDOWS:
             out[f"ma{n}"], out[f"vma{n}"] = self.mean_of_last("close", i, n), self.mean_of_last("volume", i, n)
         middle = out["bb_middle"] = out["ma20"]
-        width = 2 * self.close[i - 19 : i + 1].std(ddof=1) if middle == middle else np.nan
+        width = 2 * float(np.std(self.close[i - 19 : i + 1], ddof=1)) if middle == middle else NAN
         out["bb_upper"], out["bb_lower"] = middle + width, middle - width
         return [out[m] for m in METRICS]
 
@@ -129,7 +122,8 @@ def scan_series(
 ) -> np.ndarray:
     """The panel rows of a series: ``dates`` with their ``cutoffs``, and versions with their date's place, instants
     and values."""
-    order = np.lexsort((recorded, available))
+    order = np.lexsort((recorded, available)).tolist()
+    cutoffs, place, available, recorded, values = (x.tolist() for x in (cutoffs, place, available, recorded, values))
     scan, out, at = Scan(len(dates)), np.empty((len(dates), len(METRICS))), 0
     for i, cutoff in enumerate(cutoffs):
         start = i
@@ -138,7 +132,8 @@ def scan_series(
             if scan.put(place[v], recorded[v], values[v]):
                 start = min(start, place[v])
             at += 1
-        scan.advance(start, i)
+        for j in range(start, i + 1):
+            scan.step(j)
         out[i] = scan.row(i)
     return out
 
