@@ -30,7 +30,7 @@ from tidemark.llm.vocabularies import path, pattern
 
 SYMBOLS = b"#*$%&|<>"
 #: Words kept in a task's encoding cache; beyond it the cache starts anew (results don't change).
-CACHE_WORDS = 400_000
+CACHE_WORDS = 150_000
 #: Tokens of a stretch whose entropy is measured.
 STRETCH = 100
 #: The measures with a band.

@@ -35,18 +35,22 @@ LOOK_ALIKES = {
 VOWELS = "aeiou"
 #: Signs that may hide a vowel.
 HIDING = "*#_-."
+_HIDING = frozenset(HIDING)
 #: Costs in nats: a look-alike, a sign standing between letters, a sign hiding a vowel, a shortened run, a
 #: look-alike that stands for nothing, and a gap between short tokens that is no word's end.
 LOOK_ALIKE_COST, SEPARATOR_COST, HIDDEN_COST, RUN_COST, DROP_COST, GAP_COST = 0.7, 0.4, 2.5, 0.2, 8.0, 0.5
 #: Judged tokens kept in a task; beyond it the cache starts anew (results don't change).
-CACHE_TOKENS = 400_000
+CACHE_TOKENS = 150_000
 #: Letters from here on (ideographs, syllables) are one letter to the character model: it covers alphabets.
 ALPHABETS_END = 0x2E80
+#: Characters of texts that trigrams are counted in at a time.
+CHARACTERS = 1 << 18
 #: A run of this many tokens of one or two characters is read as one lattice.
 SHORT_RUN = 3
 #: Log odds from which on a single hit weighs more.
 STRONG = 5.0
 _EDGES = re.compile(r"\A[\W_]+|[\W_]+\Z")
+_STOPS = frozenset(".,;:!?")
 _RUN = re.compile(r"(.)\1\1")
 _GAP = " "
 
@@ -78,6 +82,8 @@ class ToxicityModel:
 
 def plain(token: str) -> str:
     """The token in lower case without signs at its ends."""
+    if token[-1:] in _STOPS and token[:-1].isalpha():
+        return token[:-1].lower()
     return _EDGES.sub("", token).lower()
 
 
@@ -144,14 +150,25 @@ def known_letter(c: str) -> str:
     return c if ord(c) < ALPHABETS_END else "\u2e80"
 
 
-#: Letters that one sign may stand for are one letter here, so that the plain skeletons of all readings agree.
-_SKELETON = str.maketrans({**{sign: near[0] for sign, near in LOOK_ALIKES.items()}, "l": "i", "£": "i"})
+class _Letters(dict):
+    """A translation of characters to letters, others to nothing. Letters that one sign may stand for are one letter, so
+    that the skeletons of all readings agree."""
 
+    def __missing__(self, code: int) -> int | None:
+        self[code] = found = code if chr(code).isalpha() else None
+        return found
+
+
+_LETTERS = _Letters({ord("l"): ord("i")})
+_READ = _Letters({**_LETTERS, **{ord(sign): ord(near[0]) for sign, near in LOOK_ALIKES.items()}, ord("£"): ord("i")})
+_REPEAT = re.compile(r"(.)\1+")
+#: Signs at a token's ends that may belong to the word.
+_END_SIGNS = frozenset(c for c in LOOK_ALIKES if not c.isdigit())
 
-def skeleton(token: str) -> str:
+
+def skeleton(token: str, letters: _Letters = _READ) -> str:
     """The letters of a token with look-alikes read and repeats taken out."""
-    letters = [c for c in token.translate(_SKELETON) if c.isalpha()]
-    return "".join(c for i, c in enumerate(letters) if not i or c != letters[i - 1])
+    return _REPEAT.sub(r"\1", token.translate(letters))
 
 
 class Scorer:
@@ -167,14 +184,19 @@ class Scorer:
 
     def weight(self, token: str) -> float:
         """The lexicon weight of a token, restored if need be; 0 outside the lexicon."""
-        word = token.lower() if token.isalpha() else plain(token)
+        whole = token.isalpha()
+        word = token.lower() if whole else plain(token)
         found = self.best(word)
-        if found or not self.model.restoration or token.isalpha() and not _RUN.search(word):
+        if found or not self.model.restoration:
             return found
-        if suspicious(word):
+        if whole or word.isalpha():
+            found = self.restored(word) if _RUN.search(word) else 0.0
+            if whole:
+                return found
+        elif suspicious(word):
             found = self.restored(word)
-        if not found and word and suspicious(whole := token.lower()) and whole != word:
-            found = self.restored(whole)
+        if not found and word and len(word) < len(token) and (token[0] in "*#" or not _END_SIGNS.isdisjoint(token)):
+            found = self.restored(token.lower()) if suspicious(token.lower()) else 0.0
         return found
 
     def best(self, word: str) -> float:
@@ -184,12 +206,13 @@ class Scorer:
 
     def may_hold(self, token: str) -> bool:
         """Whether a reading of the token may be a lexicon word: a sign inside may hide a vowel, else the skeleton decides."""
-        if any(c in HIDING for c in token[1:-1]):
+        if not _HIDING.isdisjoint(token[:-1]):
             return True
-        for bone in (skeleton(token), skeleton("".join(filter(str.isalpha, token)))):
-            if bone in self.short or not self.bones.isdisjoint(bone[i : i + 4] for i in range(len(bone) - 3)):
-                return True
-        return False
+        bones, read = self.bones, skeleton(token)
+        if read in self.short or any(read[i : i + 4] in bones for i in range(len(read) - 3)):
+            return True
+        bare = skeleton(token, _LETTERS)
+        return bare != read and (bare in self.short or any(bare[i : i + 4] in bones for i in range(len(bare) - 3)))
 
     def restored(self, token: str) -> float:
         """The greatest lexicon weight of the words that a noisy token or a run of short tokens is read as."""
@@ -299,17 +322,22 @@ class TrigramCounter:
         letter = np.fromiter((chr(i).isalpha() for i in range(ALPHABETS_END)), bool, ALPHABETS_END)
         noise = np.array([chr(i).isdigit() or chr(i) == "_" or chr(i) in LOOK_ALIKES for i in range(ALPHABETS_END)])
         #: 0: a sign or digit that may stand for a letter, 1: other signs and blanks, else a letter.
-        self.kind = np.append(np.where(letter, points[:-1] + 2, np.where(noise, 0, 1)), ALPHABETS_END + 2)
-        self.wide = np.fromiter((chr(i).isalpha() for i in range(0x110000)), bool, 0x110000)
+        kinds = np.append(np.where(letter, points[:-1] + 2, np.where(noise, 0, 1)), ALPHABETS_END + 2).astype(np.uint16)
+        wide = np.fromiter((chr(i).isalpha() for i in range(ALPHABETS_END, 0x110000)), bool, 0x110000 - ALPHABETS_END)
+        self.kind = np.concatenate([kinds[:-1], np.where(wide, kinds[-1], np.uint16(1))])
         self.total: Counter = Counter()
 
     def add(self, texts: list[str]) -> None:
-        codes = np.frombuffer("\n".join(["", *texts, ""]).lower().encode("utf-32-le", "replace"), "<u4").astype(np.int64)
-        kinds = self.kind[np.where(codes < ALPHABETS_END, codes, np.where(self.wide[codes], ALPHABETS_END, 10))]
-        a, b, c = kinds[:-2], kinds[1:-1], kinds[2:]
-        keys = ((a << 32) | (b << 16) | c)[(b > 1) & (a > 0) & (c > 0)]
-        for key, n in zip(*(x.tolist() for x in np.unique(keys, return_counts=True))):
-            self.total[key] += n
+        """Count a few texts; a very long one is counted a stretch at a time, each with the last two characters before it."""
+        joined = "\n".join(["", *texts, ""])
+        for at in range(0, max(len(joined) - 2, 0), CHARACTERS):
+            part = joined[at : at + CHARACTERS + 2].lower()
+            kinds = self.kind[np.frombuffer(part.encode("utf-32-le", "replace"), "<u4")]
+            a, b, c = kinds[:-2], kinds[1:-1], kinds[2:]
+            use = np.flatnonzero((b > 1) & (a > 0) & (c > 0))
+            keys = (a[use].astype(np.int64) << 32) | (b[use].astype(np.int64) << 16) | c[use]
+            for key, n in zip(*(x.tolist() for x in np.unique(keys, return_counts=True))):
+                self.total[key] += n
 
     def grams(self) -> Counter:
         """Trigrams with ^ and $ at words' ends; a word's first letter also counts after two ^."""
