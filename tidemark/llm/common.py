@@ -6,6 +6,8 @@ is the word rule; every operator of this subpackage uses it.
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import math
 import re
 import tempfile
@@ -63,6 +65,16 @@ def listed(ids: DataFrame) -> DataFrame:
     return F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids.hint("merge")
 
 
+def release_memory() -> None:
+    """Give what a finished task held back to the system: workers live on for other stages, and freed memory that they
+    keep would add up over these."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def text_udf(make: Callable[[], Callable[[list], pa.Array]], schema: str):
     """An Arrow UDF over a text column.
 
@@ -77,6 +89,8 @@ def text_udf(make: Callable[[], Callable[[list], pa.Array]], schema: str):
         for batch in batches:
             parts = [work(batch.slice(at, SLICE).to_pylist()) for at in range(0, len(batch), SLICE)]
             yield pa.concat_arrays(parts) if parts else work([])
+        del work
+        release_memory()
 
     return F.arrow_udf(apply, schema).asNondeterministic()
 
