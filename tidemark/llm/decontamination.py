@@ -31,11 +31,16 @@ UNITS = frozenset("km m cm mm mi ft kg g mg lb oz l ml s min h hours hour minute
 #: Words that begin sentences without being names.
 COMMON = frozenset("a an the this that these those it he she they we you i his her their our your my its how what when where which who whose why if in on at by for from with to of and or but so as after before during each every all some many most there then not no is are was were do does did can could would should find give let calculate convert write given".split())
 NUMBER, NAME, UNIT = "\x01num", "\x01name", "\x01unit"
-NAME_HASH = np.uint64(xxhash.xxh64_intdigest(NAME.encode()))
+_digest = xxhash.xxh64_intdigest
+NAME_HASH = np.uint64(_digest(NAME.encode()))
+NUMBER_HASH, UNIT_HASH = _digest(NUMBER.encode()), _digest(UNIT.encode())
+_KINDS = {**dict.fromkeys(UNITS, 3), **dict.fromkeys(NUMBER_WORDS, 1)}
+#: Last characters of a word that end a sentence.
+ENDS = frozenset(".!?:;\"”»")
 _NUMBER = re.compile(r"[-+]?[$€£]?\d[\d.,:/]*(?:st|nd|rd|th|%|[a-zµ]{1,3})?\Z")
 _EDGES = re.compile(r"\A[^\w$€£%°+-]+|[^\w%°]+\Z")
 #: Template tokens kept in a task; beyond it the cache starts anew (results don't change).
-CACHE_WORDS = 300_000
+CACHE_WORDS = 150_000
 FILTER_BITS = 24
 #: Readings of a window: names, numbers and units as slots; also names that begin sentences; numbers alone; no slots.
 SLOTTED, NAMED, NUMBERS, EXACT = range(4)
@@ -61,36 +66,42 @@ class Templates:
 
     def __init__(self, rules: TemplateRules, sizes: list[int] | None = None, keep: np.ndarray | None = None):
         self.rules, self.sizes, self.keep = rules, sizes or [rules.window], keep
-        self.clear()
-
-    def clear(self) -> None:
         self.index: dict[str, int] = {}
-        self.arrays: tuple = (np.zeros(0, np.uint64), np.zeros(0, np.int8), np.zeros(0, bool), np.zeros(0, bool), np.zeros(0, np.uint64), np.zeros(0, bool))
+        self.arrays: tuple = ()
+        self.reserve(CACHE_WORDS)
+
+    def reserve(self, words: int) -> None:
+        """Room for the attributes of so many words."""
+        self.arrays = tuple(np.zeros(words, kind) for kind in (np.uint64, np.int8, bool, bool, np.uint64, bool))
 
     @staticmethod
     def attribute(word: str) -> tuple[int, int, bool, bool, int, bool]:
         """(hash of the token, placeholder kind or 0, starts like a name, ends a sentence, hash of the word itself, is a common word)."""
         if word.isalpha():
-            core = word
+            core, ends = word, False
         elif word[-1] in ".,;:!?" and word[:-1].isalpha():
-            core = word[:-1]
+            core, ends = word[:-1], word[-1] in ".!?:;"
         else:
-            core = _EDGES.sub("", word)
+            core, ends = _EDGES.sub("", word), word[-1] in ENDS
         low = core.lower()
-        kind = 1 if low in NUMBER_WORDS or (not low.isalpha() and _NUMBER.match(low)) else 3 if low in UNITS else 0
-        token = {0: low or word, 1: NUMBER, 3: UNIT}[kind]
-        named = kind == 0 and len(core) > 1 and core[0].isupper() and core[1:].islower()
-        return xxhash.xxh64_intdigest(token.encode()), kind, named, word[-1] in ".!?:;\"'”»" and word[-1] != "'", xxhash.xxh64_intdigest((low or word).encode()), low in COMMON
+        own = _digest((low or word).encode())
+        kind = _KINDS.get(low, 0) or (1 if not low.isalpha() and _NUMBER.match(low) else 0)
+        if kind:
+            return NUMBER_HASH if kind == 1 else UNIT_HASH, kind, False, ends, own, low in COMMON
+        return own, 0, core != low and len(core) > 1 and core[0].isupper() and core[1:].islower(), ends, own, low in COMMON
 
     def learn(self, words: set[str]) -> None:
         new = words.difference(self.index)
-        if len(self.index) + len(new) > CACHE_WORDS:
-            self.clear()
+        if len(self.index) + len(new) > len(self.arrays[0]):
+            self.index.clear()
             new = words
+            if len(new) > len(self.arrays[0]):
+                self.reserve(len(new))
         if new:
-            self.index.update(zip(new, range(len(self.index), len(self.index) + len(new))))
-            found = zip(*map(self.attribute, new))
-            self.arrays = tuple(np.concatenate([a, np.array(x, a.dtype)]) for a, x in zip(self.arrays, found))
+            at = len(self.index)
+            self.index.update(zip(new, range(at, at + len(new))))
+            for array, found in zip(self.arrays, zip(*map(self.attribute, new))):
+                array[at : at + len(new)] = np.array(found, array.dtype)
 
     def tokens(self, text: str) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray, np.ndarray, list[int]]:
         """(words, token hashes, placeholder kinds, hashes of the words themselves, possible names, lines' first words).
@@ -156,9 +167,10 @@ class Templates:
                 continue
             enough = min(self.rules.min_literals, size - 1)
             rich = literal[size:] - literal[:-size] >= enough
-            at = np.flatnonzero(rich)
-            add(at, self.mixed(hashes, at, size, n, size), size, kinds, True, SLOTTED)
-            if len(at) < n:
+            h = self.mixed(hashes, slice(None), size, n, size)
+            at = np.flatnonzero(self.passing(h) & rich)
+            add(at, h[at], size, kinds, True, SLOTTED)
+            if not rich.all():
                 numbers = np.where(kinds == 1, kinds, 0)
                 left = size - np.diff(np.concatenate([[0], np.cumsum(numbers)])[[np.arange(n), np.arange(size, size + n)]], axis=0)[0]
                 at = np.flatnonzero(~rich & (left >= enough))
@@ -178,7 +190,7 @@ class Templates:
 
     def batch(self, texts: list) -> list:
         texts = [t or "" for t in texts]
-        self.learn({w for t in texts for w in t.split()})
+        self.learn(set().union(*map(str.split, texts)))
         names = ("pos", "hash", "slots", "rich", "reading")
         return [[dict(zip(names, w)) for w in self.windows(t)] if t.split() else [] for t in texts]
 
