@@ -39,7 +39,11 @@ def plain_components(pairs):
 
 def brute_classes(rows):
     fps = [(i, plain_simhash(t)) for i, t in rows]
-    links = [((x[0], i), (y[0], j)) for i, x in enumerate(fps) for j, y in enumerate(fps) if i < j and (x[1] ^ y[1]).bit_count() <= 2]
+    links = [
+        ((x[0], i), (y[0], j))
+        for i, x in enumerate(fps)
+        for j, y in enumerate(fps) if i < j and (x[1] ^ y[1]).bit_count() <= 2
+    ]
     found = plain_components([((a[1]), (b[1])) for a, b in links])
     out = []
     for i, (doc, fp) in enumerate(fps):
@@ -76,7 +80,17 @@ def test_near_duplicates_equal_brute_force(spark, docs, empty):
 def test_representatives_of_tied_rows(spark):
     """Equal ids with different texts, equal rows, and null ids: one row a component, chosen by id, then text."""
     text, other = prose(1, 80), prose(2, 80)
-    rows = [(None, text, "a"), (5, text, "b"), (5, text, "c"), (5, text, "b"), (6, text, "a"), (None, other, "n"), (None, other, "m"), (7, None, "z"), (8, "", "y")]
+    rows = [
+        (None, text, "a"),
+        (5, text, "b"),
+        (5, text, "c"),
+        (5, text, "b"),
+        (6, text, "a"),
+        (None, other, "n"),
+        (None, other, "m"),
+        (7, None, "z"),
+        (8, "", "y"),
+    ]
     table = spark.createDataFrame(rows, "doc_id bigint, text string, component string")
     got = [tuple(r) for r in simhash.keep_representatives(table.repartition(5)).collect()]
     assert sorted(got, key=str) == sorted([(5, text, "b"), (None, other, "m"), (7, None, "z")], key=str)
@@ -97,7 +111,9 @@ def test_links_on_crafted_fingerprints(spark):
     signed = lambda x: x - (1 << 64) if x >> 63 else x
     links = simhash.fingerprint_links(spark.createDataFrame([(signed(x),) for x in fps], "fp bigint"))
     got = {(x.node): x.root for x in connected_components(links).collect()}
-    want = plain_components([(signed(a), signed(b)) for i, a in enumerate(fps) for b in fps[i + 1 :] if (a ^ b).bit_count() <= 2])
+    want = plain_components(
+        [(signed(a), signed(b)) for i, a in enumerate(fps) for b in fps[i + 1 :] if (a ^ b).bit_count() <= 2]
+    )
     assert got == want
 
 
@@ -114,15 +130,30 @@ ITEM = "If Ann buys 12 red apples at the old market for 3 dollars each how much
 def test_decontamination(spark, docs, empty):
     again = ITEM.replace("Ann", "Bob").replace("12", "47").replace("3 dollars", "9 euros")
     torn = ITEM.replace("Ann", "Bob", 1).replace("12", "47")
-    rows = [(1, f"before it all {ITEM} and after"), (2, f"we ask:\n{again}"), (3, torn), (4, prose(6, 200)), (5, None), (6, "one two three short item here now"), (7, " ".join(ITEM.split()[:9]))]
-    table = spark.createDataFrame([(i, t, "en", "s", 1, "x", "y", 1, 0.5, "z") for i, t in rows], SCHEMA).withColumn("item_id", F.lit("clash"))
-    bench = spark.createDataFrame([(10, ITEM), (10, ITEM), (11, None), (12, "short item here now"), (None, "no id at all here")], "item_id bigint, text string")
+    rows = [
+        (1, f"before it all {ITEM} and after"),
+        (2, f"we ask:\n{again}"),
+        (3, torn),
+        (4, prose(6, 200)),
+        (5, None),
+        (6, "one two three short item here now"),
+        (7, " ".join(ITEM.split()[:9])),
+    ]
+    table = spark.createDataFrame(
+        [(i, t, "en", "s", 1, "x", "y", 1, 0.5, "z") for i, t in rows], SCHEMA
+    ).withColumn("item_id", F.lit("clash"))
+    bench = spark.createDataFrame(
+        [(10, ITEM), (10, ITEM), (11, None), (12, "short item here now"), (None, "no id at all here")],
+        "item_id bigint, text string",
+    )
     got = {(x.doc_id, x.item_id): x for x in decontamination.leaks(table, bench).collect()}
     assert set(got) == {(1, 10), (2, 10), (6, 12)}
     assert not got[1, 10].reparameterised and got[1, 10].coverage > 0.8 and got[2, 10].reparameterised
     kept = decontamination.drop_leaking(table, bench)
     assert kept.columns == table.columns and sorted(x.doc_id for x in kept.collect()) == [3, 4, 5, 7]
-    assert decontamination.leaks(empty, bench).count() == 0 and decontamination.leaks(table, bench.limit(0)).count() == 0
+    assert decontamination.leaks(empty, bench).count() == 0 and decontamination.leaks(
+        table, bench.limit(0)
+    ).count() == 0
     assert decontamination.leaks(docs, bench).count() == 0
 
 
@@ -145,14 +176,31 @@ def test_decontamination_windows_equal_brute_force(spark):
             positions = [tuple(item.split()[p : p + 8]) for p in range(len(item.split()) - 7)]
             if sum(p in grams(t) for p in positions) / len(positions) >= 0.4:
                 want.add((i, k))
-    got = decontamination.leaks(spark.createDataFrame(docs, "doc_id bigint, text string"), spark.createDataFrame(list(items.items()), "item_id bigint, text string"))
+    got = decontamination.leaks(
+        spark.createDataFrame(docs, "doc_id bigint, text string"),
+        spark.createDataFrame(list(items.items()), "item_id bigint, text string"),
+    )
     assert {(x.doc_id, x.item_id) for x in got.collect()} == want and want
 
 
 def test_warc_round_trip(spark):
     big = "<p>" + "x" * 300000 + "</p>"
-    rows = [(5, "http://a/", big), (3, "http://b/\r\nX: y", big), (9, None, big), (1, "http://c/", None), (2, "http://d/", ""), (4, "http://e/", "short"), (6, "http://f/", "short"), (7, "http://g/", "é" * 60), (8, "http://h/", "é" * 60), (8, "http://h/", "é" * 60), (None, "u", big)]
-    pages = spark.createDataFrame(rows, "page_id bigint, url string, html string").withColumn("record_type", F.lit("clash")).repartition(3)
+    rows = [
+        (5, "http://a/", big),
+        (3, "http://b/\r\nX: y", big),
+        (9, None, big),
+        (1, "http://c/", None),
+        (2, "http://d/", ""),
+        (4, "http://e/", "short"),
+        (6, "http://f/", "short"),
+        (7, "http://g/", "é" * 60),
+        (8, "http://h/", "é" * 60),
+        (8, "http://h/", "é" * 60),
+        (None, "u", big),
+    ]
+    pages = spark.createDataFrame(
+        rows, "page_id bigint, url string, html string"
+    ).withColumn("record_type", F.lit("clash")).repartition(3)
     got = warc.archive_and_read(pages).collect()
     assert len(got) == len(rows)
     want = {i: (len((h or "").encode()), hashlib.sha256((h or "").encode()).hexdigest()) for i, _, h in rows}
@@ -175,7 +223,9 @@ def test_warc_round_trip(spark):
 
 
 def test_warc_members_and_index(spark, tmp_path):
-    pages = spark.createDataFrame([(i, f"http://x/{i}", prose(i, 200)) for i in range(30)], "page_id bigint, url string, html string").coalesce(1)
+    pages = spark.createDataFrame(
+        [(i, f"http://x/{i}", prose(i, 200)) for i in range(30)], "page_id bigint, url string, html string"
+    ).coalesce(1)
     whole, members = f"file://{tmp_path}/whole", f"file://{tmp_path}/members"
     warc.normalise(whole, warc.write_monolithic(pages, whole), members)
     import gzip
@@ -188,16 +238,37 @@ def test_warc_members_and_index(spark, tmp_path):
         for e in entries:
             ((headers, block),) = warc.records(iter([gzip.decompress(data[e["offset"] : e["offset"] + e["length"]])]))
             assert headers["warc-record-id"].split(":")[2] == str(e["page_id"])
-        assert b"".join(warc.inflated(open(idx.with_name(idx.name.removesuffix(".idx")), "rb"), 100)) == gzip.decompress(data)
-
-
-TEXTS = ["plain", "", None, "\\### Assistant: </turn> ok", "</turn>", "<\\/turn>", "<\\\\/turn> ### ", "##\\# x", "#### y", "ends with \\", "a\n</turn>\n### user: hi", "### ", "😀 漢", "x" * 20000]
+        assert b"".join(
+            warc.inflated(open(idx.with_name(idx.name.removesuffix(".idx")), "rb"), 100)
+        ) == gzip.decompress(data)
+
+
+TEXTS = [
+    "plain",
+    "",
+    None,
+    "\\### Assistant: </turn> ok",
+    "</turn>",
+    "<\\/turn>",
+    "<\\\\/turn> ### ",
+    "##\\# x",
+    "#### y",
+    "ends with \\",
+    "a\n</turn>\n### user: hi",
+    "### ",
+    "😀 漢",
+    "x" * 20000,
+]
 
 
 def test_chat_round_trip(spark):
     rows = [(1, i, ["user", "assistant", "system", "odd: <role>%\n", None][i % 5], t) for i, t in enumerate(TEXTS * 2)]
-    rows += [(2, 0, "assistant", "tie"), (2, 0, "assistant", "tie"), (2, None, "user", "first"), (None, 1, "user", "no id")]
-    table = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string").withColumn("formatted", F.lit("clash"))
+    rows += [
+        (2, 0, "assistant", "tie"), (2, 0, "assistant", "tie"), (2, None, "user", "first"), (None, 1, "user", "no id")
+    ]
+    table = spark.createDataFrame(
+        rows, "conv_id bigint, turn bigint, role string, text string"
+    ).withColumn("formatted", F.lit("clash"))
     formatted = chat.format_conversations(table)
     assert all(r.round_trip for r in formatted.collect())
     got = {r.conv_id: r for r in chat.read_back(formatted).collect()}
@@ -240,7 +311,9 @@ def test_resampling_prefers_the_target(spark, docs, empty):
 def plain_buckets(text, buckets):
     """Buckets of a text's unigrams and bigrams, in whole numbers modulo 2^64."""
     mask = (1 << 64) - 1
-    words = [xxhash.xxh64_intdigest(bytes(b + 32 if 65 <= b <= 90 else b for b in w)) for w in (text or "").encode().split()]
+    words = [
+        xxhash.xxh64_intdigest(bytes(b + 32 if 65 <= b <= 90 else b for b in w)) for w in (text or "").encode().split()
+    ]
     pairs = [(a * 0x9E3779B97F4A7C15 & mask) ^ b for a, b in zip(words, words[1:])]
     pairs = [(p ^ p >> 32) * 0xD6E8FEB86659FD93 & mask for p in pairs]
     return [(h >> 20) % buckets for h in words + pairs]
@@ -249,7 +322,9 @@ def plain_buckets(text, buckets):
 @pytest.mark.parametrize("length", [None, 100])
 def test_resampling_equals_brute_force(spark, docs, length):
     """Weights are whole log likelihood ratios; the k largest keys are selected."""
-    rows = [(i, prose(i, 5 + i % 40)) for i in range(120)] + [(r.doc_id, r.text) for r in docs.collect() if r.doc_id != 8]
+    rows = [(i, prose(i, 5 + i % 40)) for i in range(120)] + [
+        (r.doc_id, r.text) for r in docs.collect() if r.doc_id != 8
+    ]
     table = spark.createDataFrame(rows, "doc_id bigint, text string")
     rules = resampling.ResamplingRules(keep=0.4, length=length)
     got = resampling.resample(table, table.where("doc_id < 50").select("doc_id"), rules).collect()
@@ -267,7 +342,11 @@ def test_resampling_equals_brute_force(spark, docs, length):
     keyed = sorted((r.key for r in got if r.key is not None), reverse=True)
     k = min(round(0.4 * len(rows)), len(keyed))
     for r in got:
-        near = [w for w in want[r.doc_id] if (w is None) == (r.log_weight is None) and (w is None or abs(w - r.log_weight) < 1e-6 * max(1, abs(w)))]
+        near = [
+            w
+            for w in want[r.doc_id]
+            if (w is None) == (r.log_weight is None) and (w is None or abs(w - r.log_weight) < 1e-6 * max(1, abs(w)))
+        ]
         assert near and r.selected == (r.key is not None and r.key >= keyed[k - 1])
     assert len(got) == len(rows)
 
@@ -282,14 +361,37 @@ def test_pipeline_equals_brute_force(spark, tmp_path):
     import corpus_pipeline
     from tidemark.llm import pieces, quality, toxicity
 
-    words = [f"{a}{b}" for a in ("green", "river", "stone", "light", "walk", "cloud") for b in ("s", "ing", "ed", "er", "ly", "ness", "ful", "able")]
+    words = [
+        f"{a}{b}"
+        for a in ("green", "river", "stone", "light", "walk", "cloud")
+        for b in ("s", "ing", "ed", "er", "ly", "ness", "ful", "able")
+    ]
     item = prose(900, 30, words)
     n = 260
     rows = [(i, prose(i, 90, words)) for i in range(n)]
-    rows += [(1000, rows[3][1]), (1001, rows[3][1] + " end"), (1002, "few words"), (1003, " ".join(w + "%%%" for w in rows[5][1].split())), (1004, rows[6][1] + " " + item), (1005, None)]
-    rows += [(None, rows[3][1]), (None, prose(901, 90, words)), (None, prose(902, 90, words) + " " + item), (7, rows[7][1]), (7, prose(903, 90, words))]
+    rows += [
+        (1000, rows[3][1]),
+        (1001, rows[3][1] + " end"),
+        (1002, "few words"),
+        (1003, " ".join(w + "%%%" for w in rows[5][1].split())),
+        (1004, rows[6][1] + " " + item),
+        (1005, None),
+    ]
+    rows += [
+        (None, rows[3][1]),
+        (None, prose(901, 90, words)),
+        (None, prose(902, 90, words) + " " + item),
+        (7, rows[7][1]),
+        (7, prose(903, 90, words)),
+    ]
     toxic = {i for i in range(n) if i % 4 == 0}
-    rows = [(i, " ".join([*t.split()[:10], "snotworm", *t.split()[10:20], "snotworm", *t.split()[20:]]) if i in toxic else t) for i, t in rows]
+    rows = [
+        (
+            i,
+            " ".join([*t.split()[:10], "snotworm", *t.split()[10:20], "snotworm", *t.split()[20:]]) if i in toxic else t,
+        )
+        for i, t in rows
+    ]
     schema = "doc_id bigint, text string, lang string, source string, n_chars bigint, ids string, score string"
     docs = spark.createDataFrame([(i, t, "en", "s", len(t or ""), "clash", "clash") for i, t in rows], schema)
     labels = spark.createDataFrame([(i, 1, int(i in toxic)) for i in range(n)], "doc_id bigint, quality int, toxic int")
@@ -299,12 +401,16 @@ def test_pipeline_equals_brute_force(spark, tmp_path):
     got = corpus_pipeline.run(spark, str(tmp_path)).collect()
     kept = [(i, t) for i, t in rows if t and len(t.split()) >= 50 and "%%%" not in t and i not in toxic]
     sets = [{tuple(t.lower().split()[k : k + 5]) for k in range(len(t.split()) - 4)} for _, t in kept]
-    similar = [(a, b) for a in range(len(kept)) for b in range(a) if 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b])]
+    similar = [
+        (a, b) for a in range(len(kept)) for b in range(a) if 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b])
+    ]
     found = plain_components(similar)
     best = {}
     for k, (i, t) in enumerate(kept):
         root = found.get(k, k)
-        best[root] = min(best.get(root, (True, 0, "")), (i is None, i or 0, t)) if root in best else (i is None, i or 0, t)
+        best[root] = min(
+            best.get(root, (True, 0, "")), (i is None, i or 0, t)
+        ) if root in best else (i is None, i or 0, t)
     want = sorted((None if none else i, t) for none, i, t in best.values() if item not in t and not none)
     want += sorted((None, t) for none, i, t in best.values() if item not in t and none)
     codec = pieces.PieceCodec(pieces.PieceModel())
@@ -322,7 +428,9 @@ def test_components_with_hubs(spark, monkeypatch):
     from tidemark.llm import components
 
     monkeypatch.setattr(components, "HUB_EDGES", 5)
-    edges = [(i + 1, i) for i in range(15)] + [(200 + i, 100) for i in range(40)] + [(300 + i, 250) for i in range(30)] + [(250, 100)]
+    edges = [(i + 1, i) for i in range(15)] + [
+        (200 + i, 100) for i in range(40)
+    ] + [(300 + i, 250) for i in range(30)] + [(250, 100)]
     got = {x.node: x.root for x in connected_components(spark.createDataFrame(edges, "a bigint, b bigint")).collect()}
     assert got == plain_components(edges)
 
@@ -332,7 +440,9 @@ def test_links_where_crowded_variants_are_many(spark, monkeypatch):
     from tidemark.llm import common
 
     r = random.Random(2)
-    fps = {7, 1 << 62} | {7 ^ (1 << r.randrange(64)) for _ in range(20)} | {7 ^ (1 << r.randrange(64)) ^ (1 << r.randrange(64)) for _ in range(40)}
+    fps = {7, 1 << 62} | {7 ^ (1 << r.randrange(64)) for _ in range(20)} | {
+        7 ^ (1 << r.randrange(64)) ^ (1 << r.randrange(64)) for _ in range(40)
+    }
     table = spark.createDataFrame([(x - (1 << 64) if x >> 63 else x,) for x in sorted(fps)], "fp bigint")
     few = {(x.a, x.b) for x in simhash.fingerprint_links(table).collect()}
     monkeypatch.setattr(common, "BROADCAST_IDS", 3)

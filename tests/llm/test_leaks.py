@@ -4,26 +4,45 @@ from tidemark.llm import decontamination
 
 
 def found(spark, docs, items):
-    rows = decontamination.leaks(spark.createDataFrame(list(enumerate(docs)), "doc_id bigint, text string"), spark.createDataFrame(list(enumerate(items)), "item_id bigint, text string"))
+    rows = decontamination.leaks(
+        spark.createDataFrame(list(enumerate(docs)), "doc_id bigint, text string"),
+        spark.createDataFrame(list(enumerate(items)), "item_id bigint, text string"),
+    )
     return {(x.doc_id, x.item_id) for x in rows.collect()}
 
 
 def test_items_with_few_literal_words(spark):
     items = ["What is 15 % of 80 ?", "Convert 5 km to m.", "A 5 km run takes 30 minutes at 10 km / h"]
-    docs = [*[f"Some words before it. {x} And some after it." for x in items], "Some words. What is 20 % of 80 ? And Convert 6 km to m. too"]
+    docs = [
+        *[f"Some words before it. {x} And some after it." for x in items],
+        "Some words. What is 20 % of 80 ? And Convert 6 km to m. too",
+    ]
     docs += ["Some words. What is 20 $ of 80 ? And Convert 6 kg to g. too", "we convert 5 km to 7 m and more"]
     assert found(spark, docs, items) == {(0, 0), (1, 1), (2, 2), (3, 0), (3, 1)}
 
 
 def test_number_heavy_items(spark):
     items = ["What is 12 km plus 30 km plus 45 km minus 7 km in m", "3 5 8 13 21 34 55 89 144"]
-    docs = [f"so {items[0]} then", f"so {items[1]} then", items[0].replace("30", "31").replace("45", "77"), "3 5 8 13 22 34 55 90 144", items[0].replace("km", "mi")]
+    docs = [
+        f"so {items[0]} then",
+        f"so {items[1]} then",
+        items[0].replace("30", "31").replace("45", "77"),
+        "3 5 8 13 22 34 55 90 144",
+        items[0].replace("km", "mi"),
+    ]
     assert found(spark, docs, items) == {(0, 0), (1, 1), (2, 0)}
 
 
 def test_items_of_one_or_two_words(spark):
     items = ["Grumblefool", "The river"]
-    docs = ["before\ngrumblefool!\nafter", "a grumblefool in a line", "The river", "over\n  the  river \nand", "the river sings", "River the"]
+    docs = [
+        "before\ngrumblefool!\nafter",
+        "a grumblefool in a line",
+        "The river",
+        "over\n  the  river \nand",
+        "the river sings",
+        "River the",
+    ]
     assert found(spark, docs, items) == {(0, 0), (2, 1), (3, 1)}
 
 
@@ -40,20 +59,31 @@ def test_repeated_windows_stay_linear(spark):
 
 def test_texts_are_judged_row_by_row(spark):
     item = "the quiet river walks over green stones before the morning light comes again"
-    rows = [(None, f"x {item} y"), (None, "clean text"), (7, f"y {item}"), (7, "another clean text"), (8, None), (9, "")]
+    rows = [
+        (None, f"x {item} y"), (None, "clean text"), (7, f"y {item}"), (7, "another clean text"), (8, None), (9, "")
+    ]
     docs = spark.createDataFrame(rows, "doc_id bigint, text string")
     kept = decontamination.drop_leaking(docs, spark.createDataFrame([(1, item)], "item_id bigint, text string"))
-    assert sorted((r.doc_id or 0, r.text or "") for r in kept.collect()) == [(0, "clean text"), (7, "another clean text"), (8, ""), (9, "")]
+    assert sorted((r.doc_id or 0, r.text or "") for r in kept.collect()) == [
+        (0, "clean text"), (7, "another clean text"), (8, ""), (9, "")
+    ]
 
 
 def test_names_that_begin_sentences(spark):
     item = "Maria has 12 apples. Maria eats 3 of them. How many remain?"
-    docs = ["We ask. Ahmed has 40 apples. Ahmed eats 7 of them. How many remain? That is all.", "We ask. Ahmed has 40 pears. Ahmed sells 7 of them. How much remains? That is all."]
+    docs = [
+        "We ask. Ahmed has 40 apples. Ahmed eats 7 of them. How many remain? That is all.",
+        "We ask. Ahmed has 40 pears. Ahmed sells 7 of them. How much remains? That is all.",
+    ]
     assert found(spark, docs, [item]) == {(0, 0)}
 
 
 def test_conflicting_values(spark):
     item = "a farmer sells 12 red apples at the old market and then keeps 12 green pears for the long cold winter while the children count all baskets"
     merged = "a baker moves 3 loaves from the first shelf to the top and 4 rolls from the second shelf to the floor"
-    docs = [f"so {item.replace('12', '13', 1)} it was", f"so {merged.replace('3', '5').replace('4', '5')} it was", f"so {item.replace('12', '13', 1).replace('a farmer', 'a man')} it was"]
+    docs = [
+        f"so {item.replace('12', '13', 1)} it was",
+        f"so {merged.replace('3', '5').replace('4', '5')} it was",
+        f"so {item.replace('12', '13', 1).replace('a farmer', 'a man')} it was",
+    ]
     assert found(spark, docs, [item, merged]) == {(0, 0), (1, 1), (2, 0)}

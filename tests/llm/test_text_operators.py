@@ -57,13 +57,25 @@ def test_quality_bands_reject_by_each_measure(spark):
     junk = {
         2000: ("en", " ".join(letters(7) for _ in range(120)), "chars_per_piece"),
         2001: ("en", " ".join("internationalization" + w for w in prose(1, 100, WORDS).split()), "chars_per_byte_token"),
-        2002: ("en", " ".join(w + " \u16a0\u16b1" if i % 3 == 0 else w for i, w in enumerate(prose(2, 150, WORDS).split())), "piece_fallback"),
+        2002: (
+            "en",
+            " ".join(w + " \u16a0\u16b1" if i % 3 == 0 else w for i, w in enumerate(prose(2, 150, WORDS).split())),
+            "piece_fallback",
+        ),
         2003: ("en", " ".join(w if i % 2 else "|" for i, w in enumerate(prose(3, 300, WORDS).split())), "byte_fallback"),
-        2004: ("en", " ".join(f"{a} {b} {c} again" for i, (a, b, c) in enumerate(zip(*[iter(prose(4, 150, WORDS[:4]).split())] * 3))), "token_entropy"),
+        2004: (
+            "en",
+            " ".join(
+                f"{a} {b} {c} again" for i, (a, b, c) in enumerate(zip(*[iter(prose(4, 150, WORDS[:4]).split())] * 3))
+            ),
+            "token_entropy",
+        ),
         2005: ("xx", prose(5, 150, WORDS), "chars_per_piece"),
         2006: ("en", prose(6, 150, foreign), "chars_per_piece"),
     }
-    table = spark.createDataFrame([*rows, *[(i, lang, t) for i, (lang, t, _) in junk.items()]], "doc_id bigint, lang string, text string")
+    table = spark.createDataFrame(
+        [*rows, *[(i, lang, t) for i, (lang, t, _) in junk.items()]], "doc_id bigint, lang string, text string"
+    )
     rules = quality.FertilityRules(max_repeat_percent=100)
     got = {x.doc_id: x for x in quality.annotate(table, rules=rules).collect()}
     assert sum(got[i].kept for i, _, _ in rows) >= 0.98 * len(rows)
@@ -165,7 +177,9 @@ def unigram_library(codec, file):
                 at += size
 
     def put(key, value):
-        return varint(key) + (varint(value) if key & 7 == 0 else value if key & 7 in (1, 5) else varint(len(value)) + value)
+        return varint(key) + (
+            varint(value) if key & 7 == 0 else value if key & 7 in (1, 5) else varint(len(value)) + value
+        )
 
     out, n = b"", 0
     for key, value in fields(open(file, "rb").read()):
@@ -204,7 +218,9 @@ def test_pieces_round_trip(docs, empty):
     rows = pieces.encode_documents(docs).collect()
     assert all(r.round_trip for r in rows) and len(rows) == docs.count()
     texts = {r.doc_id: r.text for r in docs.where("doc_id is not null and text is not null and doc_id <> 9").collect()}
-    back = docs.where("doc_id is not null and text is not null and doc_id <> 9").select("doc_id", pieces.decode(pieces.encode(F.col("text"))["ids"]).alias("t")).collect()
+    back = docs.where("doc_id is not null and text is not null and doc_id <> 9").select(
+        "doc_id", pieces.decode(pieces.encode(F.col("text"))["ids"]).alias("t")
+    ).collect()
     assert {r.doc_id: r.t for r in back} == texts
     assert pieces.encode_documents(empty).count() == 0
 
@@ -212,13 +228,18 @@ def test_pieces_round_trip(docs, empty):
 def test_language_identification(spark, docs, empty):
     langs = {"aa": ["kolo", "meki", "tuva", "rosi"], "bb": ["schra", "pfein", "zuld", "gech"]}
     rows = [(i, prose(i, 40, langs[lang]), lang) for i, lang in enumerate(["aa", "bb"] * 60)]
-    table = spark.createDataFrame([*rows, (900, None, "aa"), (901, "12 34", "bb"), (902, prose(1, 9, langs["aa"]), None)], "doc_id bigint, text string, lang string")
+    table = spark.createDataFrame(
+        [*rows, (900, None, "aa"), (901, "12 34", "bb"), (902, prose(1, 9, langs["aa"]), None)],
+        "doc_id bigint, text string, lang string",
+    )
     got = {r.doc_id: r for r in language_id.identify(table).collect()}
     assert len(got) == 123
     assert all(got[i].lang_pred == lang for i, _, lang in rows)
     assert got[900].lang_pred == got[901].lang_pred == "und" and got[902].lang_pred == "aa"
     assert all(0 <= r.score <= 1 and r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 3 == 1) for r in got.values())
-    odd = language_id.identify(docs.withColumn("lang_pred", F.lit("clash")).withColumn("score", F.lit("clash"))).collect()
+    odd = language_id.identify(
+        docs.withColumn("lang_pred", F.lit("clash")).withColumn("score", F.lit("clash"))
+    ).collect()
     assert len(odd) == docs.count() and {r.lang_pred for r in odd if r.doc_id in (4, 5, 6)} == {"und"}
     assert len({(r.lang_pred, r.score) for r in odd if r.doc_id == 11}) == 1
     assert language_id.identify(empty).count() == 0
@@ -228,7 +249,9 @@ def test_language_identification(spark, docs, empty):
 
 def test_equal_cosines_take_the_first_language(spark):
     text = prose(1, 40)
-    table = spark.createDataFrame([(i, text, lang) for i, lang in enumerate(["zz", "aa", "mm"] * 20)], "doc_id bigint, text string, lang string")
+    table = spark.createDataFrame(
+        [(i, text, lang) for i, lang in enumerate(["zz", "aa", "mm"] * 20)], "doc_id bigint, text string, lang string"
+    )
     langs, prototypes = language_id.fit(table)
     prototypes[:] = prototypes[0]
     assert {r.lang_pred for r in language_id.predict(table, (langs, prototypes)).collect()} == {"aa"}
@@ -240,7 +263,10 @@ def test_bundle_is_the_definition():
     letters = np.random.default_rng(space.seed).integers(0, 2, (language_id.SLOTS + 1, 64), np.int8) * 2 - 1
     slot = lambda c: ord(c) % language_id.SLOTS + 1 if c.isalpha() else 0
     text = " ab ca "
-    want = sum(np.roll(letters[slot(a)], 2) * np.roll(letters[slot(b)], 1) * letters[slot(c)] for a, b, c in zip(text, text[1:], text[2:]))
+    want = sum(
+        np.roll(letters[slot(a)], 2) * np.roll(letters[slot(b)], 1) * letters[slot(c)]
+        for a, b, c in zip(text, text[1:], text[2:])
+    )
     assert np.array_equal(p.bundles(["Ab, cA!"])[0][0], want.astype(np.float32))
 
 
@@ -281,11 +307,20 @@ def test_deobfuscation(toxic_model):
 NOISY = (
     "gruMbl3f00l", "snotw0rmmmm", "s-n-o-t-w-o-r-m", "s n o t w o r m", "5n0tw0rm!", "grumblef*ol", "sn ot wo rm",
     "s  n\to\nt w o r m", "a s n o t w o r m", "$n0tw0rm", "gr|umbl3fool", "ssssnotworm1",
-)
+)
 
 
 #: Disguised from the first letters on, so that no beginning of a lexicon word shows.
-HIDDEN = ("s-n-o-t-w-o-r-m", "s n o t w o r m", "5n0tw0rm!", "sn ot wo rm", "$n0tw0rm", "6rumb1ef00l", "gr|umbl3fool", "s.n.o.t.w.0.r.m")
+HIDDEN = (
+    "s-n-o-t-w-o-r-m",
+    "s n o t w o r m",
+    "5n0tw0rm!",
+    "sn ot wo rm",
+    "$n0tw0rm",
+    "6rumb1ef00l",
+    "gr|umbl3fool",
+    "s.n.o.t.w.0.r.m",
+)
 
 
 def test_restoration_alone_decides(spark, toxic_model):

@@ -66,13 +66,20 @@ def parse(formatted: Column) -> Column:
         body = F.substring(t, head + 2, F.length(t) - head - 2)
         legal = F.startswith(name, F.lit(HEADER)) & ~F.contains(body, F.lit(HEADER)) & ~F.contains(body, F.lit(MARK))
         role = F.when(legal, _role_in(F.substring(name, len(HEADER) + 1, 1 << 30)))
-        return F.struct(role.alias("role"), unescape(body).alias("text"), body.alias("body"), (head + 2).alias("at"), (F.length(t) + len(END)).alias("size"))
+        return F.struct(
+            role.alias("role"),
+            unescape(body).alias("text"),
+            body.alias("body"),
+            (head + 2).alias("at"),
+            (F.length(t) + len(END)).alias("size"),
+        )
 
     return F.transform(turns, turn)
 
 
 def conflict_free(role: Column, text: Column) -> Column:
-    """The first of ``text`` and its escaped form whose rendered turn reparses to (role, text); an error if neither does."""
+    """The first of ``text`` and its escaped form whose rendered turn reparses to (role, text); an error if neither
+    does."""
 
     def same(body: Column) -> Column:
         got = parse(render_turn(role, body))
@@ -93,13 +100,26 @@ def format_conversations(conversations: DataFrame) -> DataFrame:
     """
     role, text = F.coalesce("role", F.lit("")), F.coalesce("text", F.lit(""))
     rows = conversations.select("conv_id", "turn", role.alias("role"), text.alias("text"))
-    rows = rows.select("conv_id", F.struct("turn", "role", "text", conflict_free(F.col("role"), F.col("text")).alias("body")).alias("t"))
+    rows = rows.select(
+        "conv_id",
+        F.struct("turn", "role", "text", conflict_free(F.col("role"), F.col("text")).alias("body")).alias("t"),
+    )
     turns = rows.groupBy("conv_id").agg(F.sort_array(F.collect_list("t")).alias("turns"))
-    formatted = turns.select("conv_id", F.array_join(F.transform("turns", lambda t: render_turn(t["role"], t["body"])), "").alias("formatted"), F.transform("turns", lambda t: F.struct(t["role"].alias("role"), t["text"].alias("text"))).alias("source"))
+    formatted = turns.select(
+        "conv_id",
+        F.array_join(F.transform("turns", lambda t: render_turn(t["role"], t["body"])), "").alias("formatted"),
+        F.transform("turns", lambda t: F.struct(t["role"].alias("role"), t["text"].alias("text"))).alias("source"),
+    )
     parsed = formatted.withColumn("parsed", parse(F.col("formatted")))
-    begin = F.aggregate("parsed", F.struct(F.lit(0).alias("next"), F.array().cast("array<struct<start:int,length:int>>").alias("spans")), _span)
+    begin = F.aggregate(
+        "parsed",
+        F.struct(F.lit(0).alias("next"), F.array().cast("array<struct<start:int,length:int>>").alias("spans")),
+        _span,
+    )
     back = F.transform("parsed", lambda t: F.struct(t["role"].alias("role"), t["text"].alias("text")))
-    return parsed.select("conv_id", "formatted", begin["spans"].alias("loss_spans"), back.eqNullSafe(F.col("source")).alias("round_trip"))
+    return parsed.select(
+        "conv_id", "formatted", begin["spans"].alias("loss_spans"), back.eqNullSafe(F.col("source")).alias("round_trip")
+    )
 
 
 def _span(state: Column, t: Column) -> Column:
@@ -113,6 +133,23 @@ def read_back(formatted: DataFrame) -> DataFrame:
     newline, text, newline per turn), loss_chars, loss_sha256 (unescaped texts under the mask) and formatted_chars."""
     parsed = formatted.withColumn("parsed", parse(F.col("formatted")))
     turns = F.array_join(F.transform("parsed", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
-    loss = F.array_join(F.transform("loss_spans", lambda s: unescape(F.substring(F.col("formatted"), s["start"] + 1, s["length"]))), "")
-    texts = parsed.select("conv_id", F.size("parsed").cast("bigint").alias("n_turns"), turns.alias("turns"), loss.alias("loss"), F.length("formatted").cast("bigint").alias("formatted_chars"), "round_trip")
-    return texts.select("conv_id", "n_turns", F.sha2("turns", 256).alias("turns_sha256"), F.length("loss").cast("bigint").alias("loss_chars"), F.sha2("loss", 256).alias("loss_sha256"), "formatted_chars", "round_trip")
+    loss = F.array_join(
+        F.transform("loss_spans", lambda s: unescape(F.substring(F.col("formatted"), s["start"] + 1, s["length"]))), ""
+    )
+    texts = parsed.select(
+        "conv_id",
+        F.size("parsed").cast("bigint").alias("n_turns"),
+        turns.alias("turns"),
+        loss.alias("loss"),
+        F.length("formatted").cast("bigint").alias("formatted_chars"),
+        "round_trip",
+    )
+    return texts.select(
+        "conv_id",
+        "n_turns",
+        F.sha2("turns", 256).alias("turns_sha256"),
+        F.length("loss").cast("bigint").alias("loss_chars"),
+        F.sha2("loss", 256).alias("loss_sha256"),
+        "formatted_chars",
+        "round_trip",
+    )

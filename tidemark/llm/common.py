@@ -61,7 +61,8 @@ def spread(df: DataFrame, rows: int) -> DataFrame:
 
 
 def listed(ids: DataFrame) -> DataFrame:
-    """Written rows of a few numbers as the small side of a join: broadcast up to ``BROADCAST_IDS`` rows, beyond it merged."""
+    """Written rows of a few numbers as the small side of a join: broadcast up to ``BROADCAST_IDS`` rows, beyond it
+    merged."""
     return F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids.hint("merge")
 
 
@@ -78,10 +79,10 @@ def release_memory() -> None:
 def text_udf(make: Callable[[], Callable[[list], pa.Array]], schema: str):
     """An Arrow UDF over a text column.
 
-    ``make`` runs once per task and returns a function from a list of texts (None for null)
-    to an Arrow array of type ``schema``; it gets ``SLICE`` texts at a time, which bounds what a task
-    holds as Python objects, and what it returns is joined to one array per Arrow batch. Marked nondeterministic so that Catalyst keeps one
-    evaluation where several fields of the result are used.
+    ``make`` runs once per task and returns a function from a list of texts (None for null) to an Arrow array of type
+    ``schema``; it gets ``SLICE`` texts at a time, which bounds what a task holds as Python objects, and what it
+    returns is joined to one array per Arrow batch. Marked nondeterministic so that Catalyst keeps one evaluation
+    where several fields of the result are used.
     """
 
     def apply(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:

@@ -44,7 +44,9 @@ def _small_star(edges: DataFrame) -> DataFrame:
 
 
 def _digest(edges: DataFrame) -> tuple:
-    row = edges.agg(F.count("*"), F.expr("bit_xor(xxhash64(a, b))"), F.expr("sum(cast(xxhash64(b, a) as decimal(38, 0)))")).first()
+    row = edges.agg(
+        F.count("*"), F.expr("bit_xor(xxhash64(a, b))"), F.expr("sum(cast(xxhash64(b, a) as decimal(38, 0)))")
+    ).first()
     return tuple(row)
 
 
@@ -63,4 +65,6 @@ def connected_components(edges: DataFrame) -> DataFrame:
         if now == seen:
             break
         seen = now
-    return edges.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(edges.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())
+    return edges.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(
+        edges.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct()
+    )

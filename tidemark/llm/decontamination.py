@@ -1,11 +1,11 @@
 """Benchmark decontamination by template canonicalisation.
 
-Words become template tokens: numbers, names (capitalised inside a sentence; at its beginning both readings) and units turn into typed
-placeholders, other words lose their case and outer punctuation. Windows of template tokens are
-hashed and joined between benchmark items and documents. A re-parameterised question shares the
-template; it counts as a leak if the slots agree: along one alignment each value of the item stands for one value
-in the document, but for a small share of values (two values may become the same one). Where more values
-conflict but none has been replaced throughout, the text is an edited copy, whose equal windows count.
+Words become template tokens: numbers, names (capitalised inside a sentence; at its beginning both readings) and units
+turn into typed placeholders, other words lose their case and outer punctuation. Windows of template tokens are hashed
+and joined between benchmark items and documents. A re-parameterised question shares the template; it counts as a leak
+if the slots agree: along one alignment each value of the item stands for one value in the document, but for a small
+share of values (two values may become the same one). Where more values conflict but none has been replaced
+throughout, the text is an edited copy, whose equal windows count.
 
 A window with few literal words says little, so its slots are held to more: names and units must be equal and
 only numbers may change; where even then few words are left, all of it must be equal.
@@ -26,10 +26,16 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import text_udf, without_ids, written
 
 #: Number words and units that become placeholders.
-NUMBER_WORDS = frozenset("two three four five six seven eight nine ten eleven twelve twenty thirty forty fifty hundred thousand million".split())
-UNITS = frozenset("km m cm mm mi ft kg g mg lb oz l ml s min h hours hour minutes minute seconds days weeks months years dollars euros cents usd eur mph kmh km/h °c °f % $ € £".split())
+NUMBER_WORDS = frozenset(
+    "two three four five six seven eight nine ten eleven twelve twenty thirty forty fifty hundred thousand million".split()
+)
+UNITS = frozenset(
+    "km m cm mm mi ft kg g mg lb oz l ml s min h hours hour minutes minute seconds days weeks months years dollars euros cents usd eur mph kmh km/h °c °f % $ € £".split()
+)
 #: Words that begin sentences without being names.
-COMMON = frozenset("a an the this that these those it he she they we you i his her their our your my its how what when where which who whose why if in on at by for from with to of and or but so as after before during each every all some many most there then not no is are was were do does did can could would should find give let calculate convert write given".split())
+COMMON = frozenset(
+    "a an the this that these those it he she they we you i his her their our your my its how what when where which who whose why if in on at by for from with to of and or but so as after before during each every all some many most there then not no is are was were do does did can could would should find give let calculate convert write given".split()
+)
 NUMBER, NAME, UNIT = "\x01num", "\x01name", "\x01unit"
 _digest = xxhash.xxh64_intdigest
 NAME_HASH = np.uint64(_digest(NAME.encode()))
@@ -76,7 +82,8 @@ class Templates:
 
     @staticmethod
     def attribute(word: str) -> tuple[int, int, bool, bool, int, bool]:
-        """(hash of the token, placeholder kind or 0, starts like a name, ends a sentence, hash of the word itself, is a common word)."""
+        """(hash of the token, placeholder kind or 0, starts like a name, ends a sentence, hash of the word itself, is
+        a common word)."""
         if word.isalpha():
             core, ends = word, False
         elif word[-1] in ".,;:!?" and word[:-1].isalpha():
@@ -88,7 +95,9 @@ class Templates:
         kind = _KINDS.get(low, 0) or (1 if not low.isalpha() and _NUMBER.match(low) else 0)
         if kind:
             return NUMBER_HASH if kind == 1 else UNIT_HASH, kind, False, ends, own, low in COMMON
-        return own, 0, core != low and len(core) > 1 and core[0].isupper() and core[1:].islower(), ends, own, low in COMMON
+        return own, 0, core != low and len(core) > 1 and core[0].isupper() and core[
+            1:
+        ].islower(), ends, own, low in COMMON
 
     def learn(self, words: set[str]) -> None:
         new = words.difference(self.index)
@@ -106,7 +115,8 @@ class Templates:
     def tokens(self, text: str) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray, np.ndarray, list[int]]:
         """(words, token hashes, placeholder kinds, hashes of the words themselves, possible names, lines' first words).
 
-        A capitalised word after a sentence's end or a line break is a literal, and a possible name if it isn't a common word.
+        A capitalised word after a sentence's end or a line break is a literal, and a possible name if it isn't a
+        common word.
         """
         words, starts = [], []
         for line in text.split("\n"):
@@ -118,7 +128,9 @@ class Templates:
         first = np.concatenate([[True], ends[:-1]])
         first[starts] = True
         name = named & ~first
-        return words, np.where(name, NAME_HASH, hashes), np.where(name, 2, kinds), exact, named & first & ~common, starts
+        return words, np.where(name, NAME_HASH, hashes), np.where(
+            name, 2, kinds
+        ), exact, named & first & ~common, starts
 
     @staticmethod
     def mixed(hashes: np.ndarray, at: np.ndarray | slice, size: int, n: int, seed: int) -> np.ndarray:
@@ -136,11 +148,13 @@ class Templates:
         return (self.keep[low >> np.uint64(3)] >> (low & np.uint64(7)).astype(np.uint8)) & 1 == 1
 
     def windows(self, text: str) -> list[tuple[int, int, list[str], bool, int]]:
-        """(position, hash, slot values, enough literals, reading) of the text's windows, only those that the filter lets through.
+        """(position, hash, slot values, enough literals, reading) of the text's windows, only those that the filter
+        lets through.
 
         A window with possible names that begin sentences is read twice: with these as literals and with these as
         names. One with too few literal words is read with numbers as its only slots if that leaves enough words, else
-        with none. Windows of one or two words are whole lines. Of windows with equal hash and slots the first stands for all.
+        with none. Windows of one or two words are whole lines. Of windows with equal hash and slots the first stands
+        for all.
         """
         words, hashes, kinds, exact, initial, starts = self.tokens(text)
         out: dict[tuple, tuple] = {}
@@ -172,7 +186,9 @@ class Templates:
             add(at, h[at], size, kinds, True, SLOTTED)
             if not rich.all():
                 numbers = np.where(kinds == 1, kinds, 0)
-                left = size - np.diff(np.concatenate([[0], np.cumsum(numbers)])[[np.arange(n), np.arange(size, size + n)]], axis=0)[0]
+                left = size - np.diff(
+                    np.concatenate([[0], np.cumsum(numbers)])[[np.arange(n), np.arange(size, size + n)]], axis=0
+                )[0]
                 at = np.flatnonzero(~rich & (left >= enough))
                 h = self.mixed(np.where(kinds == 1, hashes, exact), at, size, n, size + NUMBERS * SEED)
                 add(at, h, size, numbers, True, NUMBERS)
@@ -197,21 +213,41 @@ class Templates:
 
 WINDOW = "array<struct<pos: int, hash: bigint, slots: array<string>, rich: boolean, reading: int>>"
 _ARROW = pa.list_(
-    pa.struct([("pos", pa.int32()), ("hash", pa.int64()), ("slots", pa.list_(pa.string())), ("rich", pa.bool_()), ("reading", pa.int32())])
+    pa.struct(
+        [
+            ("pos", pa.int32()),
+            ("hash", pa.int64()),
+            ("slots", pa.list_(pa.string())),
+            ("rich", pa.bool_()),
+            ("reading", pa.int32()),
+        ]
+    )
 )
 
 
-def _windows(rows: DataFrame, id_col: str, text_col: str, rules: TemplateRules, sizes: list[int], keep: np.ndarray | None) -> DataFrame:
+def _windows(
+    rows: DataFrame, id_col: str, text_col: str, rules: TemplateRules, sizes: list[int], keep: np.ndarray | None
+) -> DataFrame:
     def make():
         templates = Templates(rules, sizes, keep)
 
         return lambda texts: pa.array(templates.batch(texts), _ARROW)
 
-    found = rows.select(F.col(id_col).alias(f"{id_col}_"), F.explode(text_udf(make, WINDOW)(F.col(text_col))).alias("w"))
+    found = rows.select(
+        F.col(id_col).alias(f"{id_col}_"), F.explode(text_udf(make, WINDOW)(F.col(text_col))).alias("w")
+    )
     return found.select(F.col(f"{id_col}_").alias(id_col), "w.pos", "w.hash", "w.slots", "w.rich", "w.reading")
 
 
-def leaks(docs: DataFrame, benchmark: DataFrame, rules: TemplateRules | None = None, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
+def leaks(
+    docs: DataFrame,
+    benchmark: DataFrame,
+    rules: TemplateRules | None = None,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    item_col: str = "item_id",
+    item_text_col: str = "text",
+) -> DataFrame:
     """(doc_id, item_id, matched_windows, item_windows, coverage, reparameterised): the leaked items of every document.
 
     Documents are read whole and once. Their windows first pass a bit filter of fixed size (2 MB) built
@@ -228,25 +264,37 @@ def leaks(docs: DataFrame, benchmark: DataFrame, rules: TemplateRules | None = N
     known = benchmark.where(F.col(item_col).isNotNull() & F.col(item_text_col).isNotNull())
     items = known.select(F.col(item_col).alias("item_id"), F.col(item_text_col).alias("text")).distinct()
     size = F.size(F.array_remove(F.split("text", r"[ \t-\r]+"), ""))
-    short = sorted(r.n for r in items.select(size.alias("n")).where(F.col("n").between(1, rules.window - 1)).distinct().collect())
+    short = sorted(
+        r.n for r in items.select(size.alias("n")).where(F.col("n").between(1, rules.window - 1)).distinct().collect()
+    )
     parts = [_windows(items, "item_id", "text", rules, [rules.window], None)]
     parts += [_windows(items.where(size == n), "item_id", "text", rules, [n], None) for n in short]
     whole = written(reduce(DataFrame.unionByName, parts).distinct(), "benchmark-windows")
-    keys = whole.select((F.col("hash").bitwiseAND(F.lit((1 << FILTER_BITS) - 1))).alias("k")).distinct().toPandas()["k"].to_numpy(np.int64)
+    keys = whole.select(
+        (F.col("hash").bitwiseAND(F.lit((1 << FILTER_BITS) - 1))).alias("k")
+    ).distinct().toPandas()["k"].to_numpy(np.int64)
     keep = np.zeros(1 << FILTER_BITS, np.uint8)
     keep[keys] = 1
     keep = np.packbits(keep, bitorder="little")
     texts = docs.where(F.col(text_col).isNotNull())
     found = _windows(texts, id_col, text_col, rules, [rules.window, *short], keep).withColumnRenamed(id_col, "doc_id")
     first = F.min(F.struct("pos", "slots")).alias("first")
-    ours = whole.groupBy("item_id", "hash", F.col("reading").alias("item_reading")).agg(first, F.collect_set("pos").alias("at"))
-    shift, way = (F.col("pos") - F.col("first.pos")).alias("shift"), (F.col("reading") * 4 + F.col("item_reading")).alias("way")
-    joined = found.join(ours, "hash").select("doc_id", "item_id", "hash", shift, way, "slots", F.col("first.slots").alias("item_slots"), "at", "rich")
+    ours = whole.groupBy("item_id", "hash", F.col("reading").alias("item_reading")).agg(
+        first, F.collect_set("pos").alias("at")
+    )
+    shift, way = (F.col("pos") - F.col("first.pos")).alias("shift"), (
+        F.col("reading") * 4 + F.col("item_reading")
+    ).alias("way")
+    joined = found.join(ours, "hash").select(
+        "doc_id", "item_id", "hash", shift, way, "slots", F.col("first.slots").alias("item_slots"), "at", "rich"
+    )
     hits = written(joined, "benchmark-hits")
     key = ["doc_id", "item_id", "shift", "way"]
     zipped = hits.select(*key, F.explode(F.arrays_zip("item_slots", "slots")).alias("z"))
     pairs = zipped.select(*key, F.col("z.item_slots").alias("x"), F.col("z.slots").alias("y")).distinct()
-    values = pairs.groupBy(*key, "x").agg((F.count("*") > 1).alias("torn"), F.max(F.col("x") == F.col("y")).alias("kept"))
+    values = pairs.groupBy(*key, "x").agg(
+        (F.count("*") > 1).alias("torn"), F.max(F.col("x") == F.col("y")).alias("kept")
+    )
     conflicts = F.count_if("torn") > rules.max_conflicts * F.count("*")
     torn = values.groupBy(*key).agg(conflicts.alias("torn"), F.every("kept").alias("edited")).where("torn")
     torn = torn.select(*[F.col(c).alias(f"t_{c}") for c in key], "edited")
@@ -255,7 +303,9 @@ def leaks(docs: DataFrame, benchmark: DataFrame, rules: TemplateRules | None = N
         same = same & (F.col(c) == F.col(f"t_{c}"))
     equal = F.col("slots") == F.col("item_slots")
     sound = hits.join(torn, same, "left").where(F.col("edited").isNull() | (F.col("edited") & equal))
-    once = sound.groupBy("doc_id", "item_id", "hash", "at").agg(F.every(~equal).alias("other"), F.max("rich").alias("rich"))
+    once = sound.groupBy("doc_id", "item_id", "hash", "at").agg(
+        F.every(~equal).alias("other"), F.max("rich").alias("rich")
+    )
     places = once.select("doc_id", "item_id", "other", "rich", F.explode("at").alias("item_pos"))
     rich_places = F.countDistinct(F.when(F.col("rich"), F.col("item_pos"))).alias("rich_matched")
     matched = places.groupBy("doc_id", "item_id").agg(
@@ -270,7 +320,9 @@ def leaks(docs: DataFrame, benchmark: DataFrame, rules: TemplateRules | None = N
     return out.select(*ids, "matched_windows", "item_windows", "coverage", "reparameterised")
 
 
-def drop_leaking(docs: DataFrame, benchmark: DataFrame, rules: TemplateRules | None = None, text_col: str = "text") -> DataFrame:
+def drop_leaking(
+    docs: DataFrame, benchmark: DataFrame, rules: TemplateRules | None = None, text_col: str = "text"
+) -> DataFrame:
     """The rows of ``docs`` that hold no leaked item, with all their columns and nothing else.
 
     Rows are told apart by a digest of their text, so rows without an id and rows that share one are each judged

@@ -85,7 +85,13 @@ class Profiler:
         return out, found
 
 
-def fit(docs: DataFrame, space: ProfileSpace | None = None, lang_col: str = "lang", text_col: str = "text", id_col: str = "doc_id") -> tuple[list[str], np.ndarray]:
+def fit(
+    docs: DataFrame,
+    space: ProfileSpace | None = None,
+    lang_col: str = "lang",
+    text_col: str = "text",
+    id_col: str = "doc_id",
+) -> tuple[list[str], np.ndarray]:
     """Language names in order and their prototypes, from rows with a known language.
 
     At most about ``space.fit_rows`` rows are read, chosen by the hash of their id. Texts' vectors are scaled to
@@ -93,7 +99,11 @@ def fit(docs: DataFrame, space: ProfileSpace | None = None, lang_col: str = "lan
     per language reaches the driver.
     """
     space = space or ProfileSpace()
-    rows = sample_rows(docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(id_col, lang_col, text_col), id_col, space.fit_rows)
+    rows = sample_rows(
+        docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(id_col, lang_col, text_col),
+        id_col,
+        space.fit_rows,
+    )
 
     def bundle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         profiler, sums = Profiler(space), {}
@@ -104,9 +114,14 @@ def fit(docs: DataFrame, space: ProfileSpace | None = None, lang_col: str = "lan
                 if ok and size:
                     sums[lang] = sums.get(lang, 0) + np.rint(v * (1000 / size)).astype(np.int64)
         if sums:
-            yield pa.RecordBatch.from_arrays([pa.array(list(sums)), pa.array([v.tolist() for v in sums.values()], pa.list_(pa.int64()))], ["lang", "v"])
-
-    parts = rows.select(F.col(lang_col).alias("lang"), F.col(text_col)).mapInArrow(bundle, "lang string, v array<bigint>")
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(list(sums)), pa.array([v.tolist() for v in sums.values()], pa.list_(pa.int64()))],
+                ["lang", "v"],
+            )
+
+    parts = rows.select(F.col(lang_col).alias("lang"), F.col(text_col)).mapInArrow(
+        bundle, "lang string, v array<bigint>"
+    )
     cells = parts.select("lang", F.posexplode("v").alias("i", "x")).groupBy("lang", "i").agg(F.sum("x").alias("x"))
     table = cells.limit(space.max_languages * space.dimensions + 1).toPandas()
     if len(table) > space.max_languages * space.dimensions:
@@ -115,10 +130,18 @@ def fit(docs: DataFrame, space: ProfileSpace | None = None, lang_col: str = "lan
         return [], np.zeros((0, space.dimensions), np.float32)
     wide = table.pivot(index="lang", columns="i", values="x").sort_index()
     prototypes = wide.to_numpy(np.float64)
-    return list(wide.index), (prototypes / np.maximum(np.linalg.norm(prototypes, axis=1, keepdims=True), 1e-12)).astype(np.float32)
-
-
-def predict(docs: DataFrame, model: tuple[list[str], np.ndarray], space: ProfileSpace | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    return list(wide.index), (
+        prototypes / np.maximum(np.linalg.norm(prototypes, axis=1, keepdims=True), 1e-12)
+    ).astype(np.float32)
+
+
+def predict(
+    docs: DataFrame,
+    model: tuple[list[str], np.ndarray],
+    space: ProfileSpace | None = None,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+) -> DataFrame:
     """(id, lang_pred, score): the nearest prototype and its cosine, at least 0.
 
     ``und`` with score 0 for null texts, texts without letters, and where nothing was learnt. Of equal

@@ -71,7 +71,10 @@ class PieceCodec:
         if any(MARK in self.names[i].lstrip(MARK) for i in plain) or "\n" in joined:
             raise ValueError("pieces span marked words")
         self.cut = re.compile(f"{MARK}+[^{MARK}\n]*|[^{MARK}\n]+|\n").findall
-        self.plain = [bytes([int(n[3:5], 16)]) if byte[i] else b"" if special[i] else n.replace(MARK, " ").encode() for i, n in enumerate(self.names)]
+        self.plain = [
+            bytes([int(n[3:5], 16)]) if byte[i] else b"" if special[i] else n.replace(MARK, " ").encode()
+            for i, n in enumerate(self.names)
+        ]
         self.known: dict[str, bytes] = {}
 
     def _ids(self, word: str, back: list) -> bytes:
@@ -160,7 +163,16 @@ def encode(text: Column, model: PieceModel | None = None) -> Column:
             values = np.frombuffer(b"".join(ids), "<i4")
             flat = values.tolist()
             same = [codec.decode(flat[a:z]) == t.replace(MARK, " ") for a, z, t in zip(ends, ends[1:], texts)]
-            return struct_array({"ids": (pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values, pa.int32())), pa.list_(pa.int32())), "n_tokens": (np.diff(ends), pa.int64()), "round_trip": (same, pa.bool_())})
+            return struct_array(
+                {
+                    "ids": (
+                        pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values, pa.int32())),
+                        pa.list_(pa.int32()),
+                    ),
+                    "n_tokens": (np.diff(ends), pa.int64()),
+                    "round_trip": (same, pa.bool_()),
+                }
+            )
 
         return work
 
@@ -178,6 +190,10 @@ def decode(ids: Column, model: PieceModel | None = None) -> Column:
     return text_udf(make, "string")(ids)
 
 
-def encode_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", model: PieceModel | None = None) -> DataFrame:
+def encode_documents(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", model: PieceModel | None = None
+) -> DataFrame:
     """(id, ids, n_tokens, round_trip) of every row; other columns are not read. Nothing is shuffled."""
-    return docs.select(F.col(id_col), encode(F.col(text_col), model).alias("e")).select(id_col, "e.ids", "e.n_tokens", "e.round_trip")
+    return docs.select(F.col(id_col), encode(F.col(text_col), model).alias("e")).select(
+        id_col, "e.ids", "e.n_tokens", "e.round_trip"
+    )

@@ -41,7 +41,8 @@ BROADCAST_BANDS = 10_000
 
 @dataclass(frozen=True)
 class Fence:
-    """The band of a measure: quartiles moved out by ``reach`` interquartile ranges, by ``least`` at least, on the named sides."""
+    """The band of a measure: quartiles moved out by ``reach`` interquartile ranges, by ``least`` at least, on the
+    named sides."""
 
     least: float
     below: bool = True
@@ -96,7 +97,9 @@ def script_of(text: str) -> str:
     if not len(codes):
         return "none"
     edges = [0x0250, 0x0370, 0x0400, 0x0530, 0x2E80, 0xA000, 0xAC00, 0xD7B0, 0xF900, 0xFB00, 0x20000, 0x32000]
-    names = ["latin", "other", "greek", "cyrillic", "other", "cjk", "other", "cjk", "other", "cjk", "other", "cjk", "other"]
+    names = [
+        "latin", "other", "greek", "cyrillic", "other", "cjk", "other", "cjk", "other", "cjk", "other", "cjk", "other"
+    ]
     counts: dict[str, int] = {}
     for region, n in zip(*np.unique(np.searchsorted(edges, codes, side="right"), return_counts=True)):
         counts[names[region]] = counts.get(names[region], 0) + int(n)
@@ -161,7 +164,10 @@ class _Fertility:
         strings = [w.decode() for w in new]
         pieces = self.pieces.encode(strings, num_threads=1)
         sizes = np.fromiter(map(len, pieces), np.int64, len(pieces))
-        fell = np.add.reduceat(self.piece_fell[np.fromiter((i for x in pieces for i in x), np.int32)].astype(np.int32), np.cumsum(sizes) - sizes)
+        fell = np.add.reduceat(
+            self.piece_fell[np.fromiter((i for x in pieces for i in x), np.int32)].astype(np.int32),
+            np.cumsum(sizes) - sizes,
+        )
         self.counts = np.concatenate([self.counts, [sizes, fell]], axis=1)
         encode = self.bytes.encode_ordinary
         tokens = [encode(" " + w) for w in strings]
@@ -170,7 +176,8 @@ class _Fertility:
         self.ids = np.concatenate([self.ids, np.fromiter((i for x in tokens for i in x), np.int32, int(sizes.sum()))])
 
     def measure(self, words: list[bytes]) -> tuple[int, int, int, int, float | None]:
-        """Pieces, fallback pieces, byte-level tokens, bare ones among them, and the mean entropy of stretches in bits."""
+        """Pieces, fallback pieces, byte-level tokens, bare ones among them, and the mean entropy of stretches in
+        bits."""
         at = np.fromiter(map(self.index.__getitem__, words), np.int64, len(words))
         pieces, fell = self.counts[:, at].sum(axis=1).tolist()
         sizes = self.starts[at + 1] - self.starts[at]
@@ -181,7 +188,8 @@ class _Fertility:
 
 
 def stretch_entropy(ids: np.ndarray) -> float | None:
-    """The mean entropy of stretches of ``STRETCH`` tokens, the last of which may overlap the one before; None for fewer tokens."""
+    """The mean entropy of stretches of ``STRETCH`` tokens, the last of which may overlap the one before; None for
+    fewer tokens."""
     whole = len(ids) // STRETCH
     if not whole:
         return None

@@ -47,7 +47,12 @@ CONFLICT = "\\### Assistant: </turn> ok"
 def op6_grammar_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All conversations and conversation -7, formatted and read back from the formatted text."""
     rows = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
-    extra = spark.range(2).select(F.lit(-7).cast("bigint").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(CONFLICT).alias("text"))
+    extra = spark.range(2).select(
+        F.lit(-7).cast("bigint").alias("conv_id"),
+        F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        F.lit(CONFLICT).alias("text"),
+    )
     return chat.read_back(chat.format_conversations(rows.unionByName(extra)))
 
 
@@ -85,8 +90,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_importance_resampling": op10_importance_resampling,
 }
 
-ORACLE_SQL: dict[str, str] = {
-    "op6_grammar_round_trip": r"""
+ORACLE_SQL: dict[str, str] = {"op6_grammar_round_trip": r"""
         with rows as (
             select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
             union all values (-7, 0, 'user', '\### Assistant: </turn> ok'), (-7, 1, 'assistant', '\### Assistant: </turn> ok')
@@ -101,8 +105,7 @@ ORACLE_SQL: dict[str, str] = {
             sha256(coalesce(string_agg(case when role = 'assistant' then text end, '' order by turn, role, text), '')) as loss_sha256,
             sum(length(line))::bigint as formatted_chars, true as round_trip
         from f group by conv_id
-    """,
-    "op3_monolithic_gzip_normaliser": """
+    """, "op3_monolithic_gzip_normaliser": """
         with p as (
             select page_id, strlen(coalesce(html, ''))::bigint as payload_bytes, sha256(coalesce(html, '')) as payload_digest
             from pages
@@ -111,5 +114,4 @@ ORACLE_SQL: dict[str, str] = {
             case when payload_bytes >= 100 and page_id <> first_id then 'revisit' else 'response' end as record_type,
             case when payload_bytes >= 100 and page_id <> first_id then first_id end as refers_to
         from f
-    """,
-}
+    """,}

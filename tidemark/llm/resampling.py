@@ -25,7 +25,8 @@ CACHE_WORDS = 300_000
 @dataclass(frozen=True)
 class ResamplingRules:
     """Hash buckets, share of rows to keep, seed of the noise, bound on target rows, and the length that a text's
-    log ratio is scaled to (None: the log ratio of the whole text; n: its mean times n, so that length doesn't count)."""
+    log ratio is scaled to (None: the log ratio of the whole text; n: its mean times n, so that length doesn't
+    count)."""
 
     buckets: int = 1 << 16
     keep: float = 0.8
@@ -56,18 +57,30 @@ class HashedGrams:
         return (np.concatenate([h, pairs]) >> np.uint64(20)) % self.buckets
 
 
-def fit(docs: DataFrame, target_ids: DataFrame, rules: ResamplingRules | None = None, id_col: str = "doc_id", text_col: str = "text") -> np.ndarray:
+def fit(
+    docs: DataFrame,
+    target_ids: DataFrame,
+    rules: ResamplingRules | None = None,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+) -> np.ndarray:
     """Log ratio of the target's and all texts' probability of each bucket.
 
     All documents are counted for the raw model, those of ``target_ids`` (at most about ``rules.fit_rows``, which
     bounds what is broadcast) for the target. Two numbers a bucket reach the driver.
     """
     rules = rules or ResamplingRules()
-    ids = sample_rows(target_ids.select(F.col(target_ids.columns[0]).alias("__target")).where("__target is not null").distinct(), "__target", rules.fit_rows)
+    ids = sample_rows(
+        target_ids.select(F.col(target_ids.columns[0]).alias("__target")).where("__target is not null").distinct(),
+        "__target",
+        rules.fit_rows,
+    )
     marked = docs.select(id_col, text_col).join(F.broadcast(ids), F.col(id_col) == F.col("__target"), "left")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        grams, raw, target = HashedGrams(rules.buckets), np.zeros(rules.buckets, np.int64), np.zeros(rules.buckets, np.int64)
+        grams, raw, target = HashedGrams(rules.buckets), np.zeros(rules.buckets, np.int64), np.zeros(
+            rules.buckets, np.int64
+        )
         for batch in batches:
             for at in range(0, batch.num_rows, SLICE):
                 texts, chosen = (c.slice(at, SLICE).to_pylist() for c in batch.columns)
@@ -76,9 +89,14 @@ def fit(docs: DataFrame, target_ids: DataFrame, rules: ResamplingRules | None =
                         counts += np.bincount(np.concatenate(found), minlength=rules.buckets)
         used = np.flatnonzero(raw)
         if len(used):
-            yield pa.RecordBatch.from_arrays([pa.array(used.astype(np.int32)), pa.array(raw[used]), pa.array(target[used])], ["bucket", "raw", "target"])
-
-    parts = marked.select(text_col, F.col("__target").isNotNull().alias("chosen")).mapInArrow(count, "bucket int, raw bigint, target bigint")
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(used.astype(np.int32)), pa.array(raw[used]), pa.array(target[used])],
+                ["bucket", "raw", "target"],
+            )
+
+    parts = marked.select(text_col, F.col("__target").isNotNull().alias("chosen")).mapInArrow(
+        count, "bucket int, raw bigint, target bigint"
+    )
     table = parts.groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("target").alias("target")).toPandas()
     raw, target = np.full(rules.buckets, rules.smoothing), np.full(rules.buckets, rules.smoothing)
     if len(table):
@@ -87,7 +105,13 @@ def fit(docs: DataFrame, target_ids: DataFrame, rules: ResamplingRules | None =
     return np.log(target / target.sum()) - np.log(raw / raw.sum())
 
 
-def weigh(docs: DataFrame, ratios: np.ndarray, rules: ResamplingRules | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def weigh(
+    docs: DataFrame,
+    ratios: np.ndarray,
+    rules: ResamplingRules | None = None,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+) -> DataFrame:
     """(id, log_weight, key): null weight and key for texts without words."""
     rules = rules or ResamplingRules()
 
@@ -122,19 +146,29 @@ def kth_largest(rows: DataFrame, column: str, k: int, buckets: int = 4096, enoug
         inside = rows.where(F.col(column).between(low, high))
         width = (high - low) / buckets
         slices = F.least(F.floor((F.col(column) - low) / width), F.lit(buckets - 1)).alias("slice")
-        stats = inside.groupBy(slices).agg(F.count("*").alias("n"), F.min(column).alias("a"), F.max(column).alias("z")).orderBy(F.desc("slice")).collect()
+        stats = inside.groupBy(slices).agg(
+            F.count("*").alias("n"), F.min(column).alias("a"), F.max(column).alias("z")
+        ).orderBy(F.desc("slice")).collect()
         for row in stats:
             if above + row.n >= k:
                 break
             above += row.n
         if row.n <= enough:
-            values = sorted((r[0] for r in rows.where(F.col(column).between(row.a, row.z)).select(column).collect()), reverse=True)
+            values = sorted(
+                (r[0] for r in rows.where(F.col(column).between(row.a, row.z)).select(column).collect()), reverse=True
+            )
             return values[k - above - 1]
         low, high = row.a, row.z
     return low
 
 
-def resample(docs: DataFrame, target_ids: DataFrame, rules: ResamplingRules | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def resample(
+    docs: DataFrame,
+    target_ids: DataFrame,
+    rules: ResamplingRules | None = None,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+) -> DataFrame:
     """(id, log_weight, key, selected) of every row of ``docs``.
 
     ``selected`` marks the k = round(keep x rows) largest keys; texts without words have no key and are never

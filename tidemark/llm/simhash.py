@@ -50,11 +50,15 @@ def simhash(text: str | None, shingle: int = SHINGLE) -> int:
     return int(np.packbits(over, bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, *more: str) -> DataFrame:
+def fingerprints(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, *more: str
+) -> DataFrame:
     """(id, fp) and the columns ``more``: the fingerprint of every row as a signed 64-bit long; nothing is shuffled."""
 
     def make():
-        return lambda texts: struct_array({"fp": (np.array([simhash(t, shingle) for t in texts], np.uint64).view(np.int64), pa.int64())})
+        return lambda texts: struct_array(
+            {"fp": (np.array([simhash(t, shingle) for t in texts], np.uint64).view(np.int64), pa.int64())}
+        )
 
     found = text_udf(make, "struct<fp: bigint>")(F.col(text_col)).alias("f")
     return docs.select(F.col(id_col), *more, found).select(id_col, "f.fp", *more)
@@ -63,15 +67,17 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 def _variants(fps: DataFrame) -> DataFrame:
     """(key, fp): bits 32-37 of a key number the open bit, its low 32 bits are the rest of the segment."""
     key = F.expr(
-        f"explode(transform(sequence(0, {BITS - 1}), i -> (cast(i as bigint) << {SEGMENT_BITS}) | "
-        f"(shiftrightunsigned(fp, (i div {SEGMENT_BITS}) * {SEGMENT_BITS}) & 4294967295L & ~(1L << (i % {SEGMENT_BITS})))))"
+        f"explode(transform(sequence(0, {BITS - 1}), i -> (cast(i as bigint) << {SEGMENT_BITS}) | " f"(shiftrightunsigned(fp, (i div {SEGMENT_BITS}) * {SEGMENT_BITS}) & 4294967295L & ~(1L << (i % {SEGMENT_BITS})))))"
     )
     return fps.select(key.alias("key"), "fp")
 
 
 def _centres(fps: DataFrame) -> DataFrame:
     """(centre, fp): the fingerprint itself and its 64 one-bit neighbours."""
-    return fps.select(F.expr(f"explode(concat(array(fp), transform(sequence(0, {BITS - 1}), i -> fp ^ (1L << i))))").alias("centre"), "fp")
+    return fps.select(
+        F.expr(f"explode(concat(array(fp), transform(sequence(0, {BITS - 1}), i -> fp ^ (1L << i))))").alias("centre"),
+        "fp",
+    )
 
 
 def fingerprint_links(fps: DataFrame) -> DataFrame:
@@ -97,18 +103,30 @@ def fingerprint_links(fps: DataFrame) -> DataFrame:
 
 def _classes(docs: DataFrame, id_col: str, text_col: str, shingle: int) -> DataFrame:
     """(id, text_hash, fp, component_id) of every row of ``docs``."""
-    prints = fingerprints(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("text_hash")), "id", "text", shingle, "text_hash")
+    prints = fingerprints(
+        docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("text_hash")),
+        "id",
+        "text",
+        shingle,
+        "text_hash",
+    )
     rows = written(prints, "simhash-rows")
     distinct = written(rows.groupBy("fp").agg(F.min("id").alias("least")), "simhash-distinct")
     roots = connected_components(fingerprint_links(distinct.select("fp"))).hint("merge")
     root = F.coalesce("root", "fp").alias("root")
-    linked = written(distinct.join(roots, distinct.fp == roots.node, "left").select("fp", "least", root), "simhash-linked")
+    linked = written(
+        distinct.join(roots, distinct.fp == roots.node, "left").select("fp", "least", root), "simhash-linked"
+    )
     smallest = linked.groupBy("root").agg(F.min("least").alias("component_id"))
-    classes = written(linked.join(smallest.hint("merge"), "root").select("fp", "component_id", "root"), "simhash-classes")
+    classes = written(
+        linked.join(smallest.hint("merge"), "root").select("fp", "component_id", "root"), "simhash-classes"
+    )
     return rows.join(classes.hint("merge"), "fp")
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE) -> DataFrame:
+def near_duplicates(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE
+) -> DataFrame:
     """(id, fingerprint, component_id) for every row of ``docs``.
 
     ``fingerprint`` is 16 lower-case hex digits; ``component_id`` is the smallest id reachable over
@@ -123,14 +141,17 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return _classes(docs, id_col, text_col, shingle).select(F.col("id").alias(id_col), fingerprint, "component_id")
 
 
-def keep_representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE) -> DataFrame:
+def keep_representatives(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE
+) -> DataFrame:
     """``docs`` with one row of each component (see ``keep_one``), every column as it is."""
     classes = _classes(docs, id_col, text_col, shingle).select("id", "text_hash", F.col("root").alias("component"))
     return keep_one(docs, classes, id_col, text_col)
 
 
 def keep_one(docs: DataFrame, classes: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """``docs`` with one row of each component of ``classes`` (id, text_hash, component; a row for every row of ``docs``).
+    """``docs`` with one row of each component of ``classes`` (id, text_hash, component; a row for every row of
+    ``docs``).
 
     The row with the smallest id stays (null ids last; of equal ids that with the smallest hash of its text; of
     rows equal in both any one, chosen by the values of all columns). Only ids and hashes are gathered; the rows to go
@@ -139,8 +160,12 @@ def keep_one(docs: DataFrame, classes: DataFrame, id_col: str, text_col: str) ->
     classes = written(classes, "copies-members")
     order = F.struct(F.col("id").isNull(), "id", "text_hash")
     best = classes.groupBy("component").agg(F.min(order).alias("best"), F.count("*").alias("n"))
-    joined = classes.join(best.where("n > 1").hint("merge"), "component").select("id", "text_hash", (order == F.col("best")).alias("stays"))
-    counted = written(joined.groupBy("id", "text_hash").agg(F.max("stays").alias("stays"), F.count("*").alias("n")), "copies-counted")
+    joined = classes.join(best.where("n > 1").hint("merge"), "component").select(
+        "id", "text_hash", (order == F.col("best")).alias("stays")
+    )
+    counted = written(
+        joined.groupBy("id", "text_hash").agg(F.max("stays").alias("stays"), F.count("*").alias("n")), "copies-counted"
+    )
     gone = counted.where("not stays").select(F.col("id").alias("__id"), F.col("text_hash").alias("__hash"))
     again = counted.where("stays and n > 1").select(F.col("id").alias("__id"), F.col("text_hash").alias("__hash"))
     same = docs[id_col].eqNullSafe(F.col("__id")) & (F.xxhash64(docs[text_col]) == F.col("__hash"))

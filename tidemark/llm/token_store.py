@@ -87,7 +87,10 @@ class Encoder:
         self.library = Library.from_file(tokenizer.file)
         self.library.encode_special_tokens = tokenizer.special_as_text
         #: Strings that the library takes out of a text before anything else; texts with one go to it whole.
-        added = [t.content for t in self.library.get_added_tokens_decoder().values() if not (t.special and tokenizer.special_as_text)]
+        added = [
+            t.content
+            for t in self.library.get_added_tokens_decoder().values() if not (t.special and tokenizer.special_as_text)
+        ]
         self.added = re.compile("|".join(map(re.escape, added)) or r"(?!)").search
         self.end = b"" if tokenizer.end_id is None else np.uint32(tokenizer.end_id).astype("<u4").tobytes()
         self.pieces = _Cache(self._piece)
@@ -151,7 +154,14 @@ def _encoder(tokenizer: Tokenizer) -> Encoder:
     return _ENCODERS[tokenizer]
 
 
-def write_tokens(docs: DataFrame, to: str, tokenizer: Tokenizer | None = None, fmt: TokenFormat | None = None, id_col: str = "doc_id", text_col: str = "text") -> None:
+def write_tokens(
+    docs: DataFrame,
+    to: str,
+    tokenizer: Tokenizer | None = None,
+    fmt: TokenFormat | None = None,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+) -> None:
     """Encode every row of ``docs`` (null text: empty) and write shards in ascending id order to ``to``.
 
     Rows with equal ids stay next to each other, ordered by text; null ids come first. Other columns
@@ -159,7 +169,14 @@ def write_tokens(docs: DataFrame, to: str, tokenizer: Tokenizer | None = None, f
     ids, whatever the sizes of groups in other columns.
     """
     tokenizer, fmt = tokenizer or Tokenizer(), fmt or TokenFormat()
-    schema = pa.schema([("doc_id", pa.int64()), ("tokens", pa.list_(pa.int32())), ("n_tokens", pa.int64()), ("shard_start", pa.int64())])
+    schema = pa.schema(
+        [
+            ("doc_id", pa.int64()),
+            ("tokens", pa.list_(pa.int32())),
+            ("n_tokens", pa.int64()),
+            ("shard_start", pa.int64()),
+        ]
+    )
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, start = _encoder(tokenizer), 0
@@ -171,13 +188,24 @@ def write_tokens(docs: DataFrame, to: str, tokenizer: Tokenizer | None = None, f
                 ends = np.concatenate([[0], np.cumsum(sizes)])
                 values = pa.array(np.frombuffer(b"".join(ids), "<i4"), pa.int32())
                 tokens = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), values)
-                yield pa.RecordBatch.from_arrays([part.column(0), tokens, pa.array(sizes), pa.array(start + ends[:-1])], schema=schema)
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0), tokens, pa.array(sizes), pa.array(start + ends[:-1])], schema=schema
+                )
                 start += int(ends[-1])
 
-    kind = StructType([StructField("doc_id", LongType()), StructField("tokens", ArrayType(IntegerType())), StructField("n_tokens", LongType()), StructField("shard_start", LongType())])
+    kind = StructType(
+        [
+            StructField("doc_id", LongType()),
+            StructField("tokens", ArrayType(IntegerType())),
+            StructField("n_tokens", LongType()),
+            StructField("shard_start", LongType()),
+        ]
+    )
     rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
     ranged = rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
-    ranged.mapInArrow(encode, kind).withColumn("shard", F.spark_partition_id()).write.options(**fmt.options()).parquet(to)
+    ranged.mapInArrow(encode, kind).withColumn(
+        "shard", F.spark_partition_id()
+    ).write.options(**fmt.options()).parquet(to)
 
 
 def read_tokens(spark: SparkSession, path: str, columns: tuple[str, ...] = ("tokens",)) -> DataFrame:
@@ -189,7 +217,9 @@ def read_tokens(spark: SparkSession, path: str, columns: tuple[str, ...] = ("tok
     """
     store = spark.read.parquet(path)
     sizes = store.groupBy("shard").agg(F.sum("n_tokens").alias("size"))
-    earlier = sizes.selectExpr("shard", "sum(size) over (order by shard rows between unbounded preceding and current row) - size as before")
+    earlier = sizes.selectExpr(
+        "shard", "sum(size) over (order by shard rows between unbounded preceding and current row) - size as before"
+    )
     placed = store.join(F.broadcast(earlier), "shard")
     return placed.select("doc_id", (F.col("before") + F.col("shard_start")).alias("start"), "n_tokens", *columns)
 

@@ -31,7 +31,7 @@ from tidemark.llm.language_id import held_out
 LOOK_ALIKES = {
     "0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "g", "7": "t", "8": "b", "9": "g",
     "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "(": "c", "<": "c", "€": "e", "£": "l", "¡": "i", "¢": "c",
-}
+}
 VOWELS = "aeiou"
 #: Signs that may hide a vowel.
 HIDING = "*#_-."
@@ -71,7 +71,8 @@ class ToxicityRules:
 
 @dataclass(frozen=True)
 class ToxicityModel:
-    """Trigram log probabilities (with the lower orders mixed in), lexicon weights, calibration (bias and four weights)."""
+    """Trigram log probabilities (with the lower orders mixed in), lexicon weights, calibration (bias and four
+    weights)."""
 
     trigrams: dict[str, float]
     floor: float
@@ -101,7 +102,8 @@ def suspicious(token: str) -> bool:
 
 
 def lattice(token: str) -> list[list[tuple[str, float]]]:
-    """For each run of one character, the strings it may stand for and their costs. A blank is a gap between short tokens."""
+    """For each run of one character, the strings it may stand for and their costs. A blank is a gap between short
+    tokens."""
     out, at = [], 0
     while at < len(token):
         c, end = token[at], at
@@ -118,7 +120,9 @@ def lattice(token: str) -> list[list[tuple[str, float]]]:
                 ways += [(c * 2, RUN_COST)]
         else:
             near = LOOK_ALIKES.get(c, "")
-            ways = [(x * k, LOOK_ALIKE_COST + (RUN_COST if k != size else 0.0)) for x in near for k in {1, min(size, 2)}]
+            ways = [
+                (x * k, LOOK_ALIKE_COST + (RUN_COST if k != size else 0.0)) for x in near for k in {1, min(size, 2)}
+            ]
             ways += [("", SEPARATOR_COST if not near else DROP_COST)]
             if c in HIDING:
                 ways += [(v, HIDDEN_COST) for v in VOWELS]
@@ -127,7 +131,8 @@ def lattice(token: str) -> list[list[tuple[str, float]]]:
 
 
 def restore(token: str, model: ToxicityModel) -> str:
-    """The most likely intended words, parted by blanks: Viterbi over the last two letters of the paths through the lattice."""
+    """The most likely intended words, parted by blanks: Viterbi over the last two letters of the paths through the
+    lattice."""
     score, floor = model.trigrams.get, model.floor
     paths: dict[str, tuple[float, str]] = {"^^": (0.0, "")}
     for ways in [*lattice(token), [("$", 0.0)]]:
@@ -205,7 +210,8 @@ class Scorer:
         return max((self.model.lexicon.get(f, 0.0) for f in forms(word)), default=0.0)
 
     def may_hold(self, token: str) -> bool:
-        """Whether a reading of the token may be a lexicon word: a sign inside may hide a vowel, else the skeleton decides."""
+        """Whether a reading of the token may be a lexicon word: a sign inside may hide a vowel, else the skeleton
+        decides."""
         if not _HIDING.isdisjoint(token[:-1]):
             return True
         bones, read = self.bones, skeleton(token)
@@ -328,7 +334,8 @@ class TrigramCounter:
         self.total: Counter = Counter()
 
     def add(self, texts: list[str]) -> None:
-        """Count a few texts; a very long one is counted a stretch at a time, each with the last two characters before it."""
+        """Count a few texts; a very long one is counted a stretch at a time, each with the last two characters before
+        it."""
         joined = "\n".join(["", *texts, ""])
         for at in range(0, max(len(joined) - 2, 0), CHARACTERS):
             part = joined[at : at + CHARACTERS + 2].lower()
@@ -354,7 +361,8 @@ class TrigramCounter:
 def _trigrams(
     texts: DataFrame, lexicon: dict[str, float], rules: ToxicityRules
 ) -> tuple[dict[str, float], float]:
-    """Character trigram log probabilities of all words of ``texts`` (text), lexicon words filled up to their share of the weight.
+    """Character trigram log probabilities of all words of ``texts`` (text), lexicon words filled up to their share of
+    the weight.
 
     Only trigrams over the letters of alphabets reach the driver, all other letters being one: their number
     is bounded by the alphabets in use, not by the rows.
@@ -414,7 +422,9 @@ def fit(docs: DataFrame, labels: DataFrame, rules: ToxicityRules | None = None)
     texts = written(labelled.select("text", "toxic"), "toxicity-fit")
     n = texts.agg(F.count("*").alias("n"), F.coalesce(F.sum("toxic"), F.lit(0)).alias("toxic")).first()
     if not n.toxic or n.toxic == n.n:
-        return ToxicityModel({}, math.log(1e-4), {}, (-4.0 if not n.toxic else 4.0, 0.0, 0.0, 0.0, 0.0), rules.restoration)
+        return ToxicityModel(
+            {}, math.log(1e-4), {}, (-4.0 if not n.toxic else 4.0, 0.0, 0.0, 0.0, 0.0), rules.restoration
+        )
     words = written(_word_table(texts), "toxicity-words")
     lexicon = _lexicon(words, n.toxic, n.n - n.toxic, rules)
     trigrams, floor = _trigrams(docs, lexicon, rules)

@@ -127,29 +127,52 @@ def write_monolithic(pages: DataFrame, folder: str) -> DataFrame:
     Each input partition becomes one whole-file gzip stream ``part-NNNNN.warc.gz``. Returns the
     manifest (page_id, part, seq, payload_bytes, payload_digest), one row per record; nothing is shuffled.
     """
-    schema = pa.schema([("page_id", pa.int64()), ("part", pa.int32()), ("seq", pa.int64()), ("payload_bytes", pa.int64()), ("payload_digest", pa.string())])
+    schema = pa.schema(
+        [
+            ("page_id", pa.int64()),
+            ("part", pa.int32()),
+            ("seq", pa.int64()),
+            ("payload_bytes", pa.int64()),
+            ("payload_digest", pa.string()),
+        ]
+    )
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, seq, target, deflate = TaskContext.get().partitionId(), 0, None, zlib.compressobj(LEVEL, zlib.DEFLATED, 31)
+        part, seq, target, deflate = TaskContext.get().partitionId(), 0, None, zlib.compressobj(
+            LEVEL, zlib.DEFLATED, 31
+        )
         for batch in batches:
             rows = []
             for page, url, html in zip(*(c.to_pylist() for c in batch.columns)):
                 payload = (html or "").encode()
                 digest = hashlib.sha256(payload).hexdigest()
-                headers = {"WARC-Type": "response", "WARC-Record-ID": f"<urn:page:{'' if page is None else page}:{part}-{seq}>", "WARC-Date": DATE}
-                headers |= {"WARC-Target-URI": quote(url or "urn:unknown", safe="!#$&'()*+,/:;=?@[]%~"), "WARC-Payload-Digest": f"sha256:{digest}", "Content-Type": "application/http;msgtype=response"}
+                headers = {
+                    "WARC-Type": "response",
+                    "WARC-Record-ID": f"<urn:page:{'' if page is None else page}:{part}-{seq}>",
+                    "WARC-Date": DATE,
+                }
+                headers |= {
+                    "WARC-Target-URI": quote(url or "urn:unknown", safe="!#$&'()*+,/:;=?@[]%~"),
+                    "WARC-Payload-Digest": f"sha256:{digest}",
+                    "Content-Type": "application/http;msgtype=response",
+                }
                 target = target or _Target(folder, f"part-{part:05d}.warc.gz")
                 target.write(deflate.compress(record(headers, _http(payload) + payload)))
                 rows.append((page, part, seq, len(payload), digest))
                 seq += 1
             if rows:
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), schema.types)], schema=schema)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c, t) for c, t in zip(zip(*rows), schema.types)], schema=schema
+                )
         if target:
             target.write(deflate.flush())
             target.close()
 
     rows = pages.select(F.col("page_id").cast("bigint"), "url", "html")
-    return written(rows.mapInArrow(write, "page_id bigint, part int, seq bigint, payload_bytes bigint, payload_digest string"), "warc-manifest")
+    return written(
+        rows.mapInArrow(write, "page_id bigint, part int, seq bigint, payload_bytes bigint, payload_digest string"),
+        "warc-manifest",
+    )
 
 
 def revisits(manifest: DataFrame, min_bytes: int = MIN_REVISIT_BYTES) -> DataFrame:
@@ -161,8 +184,12 @@ def revisits(manifest: DataFrame, min_bytes: int = MIN_REVISIT_BYTES) -> DataFra
     """
     order = F.struct(F.col("page_id").isNull(), "page_id", "part", "seq")
     large = manifest.where(F.col("payload_bytes") >= min_bytes)
-    first = large.groupBy("payload_digest").agg(F.min(order).alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
-    others = large.join(first, "payload_digest").where((F.col("first.part") != F.col("part")) | (F.col("first.seq") != F.col("seq")))
+    first = large.groupBy("payload_digest").agg(
+        F.min(order).alias("first"), F.count("*").alias("n")
+    ).where("n > 1").drop("n")
+    others = large.join(first, "payload_digest").where(
+        (F.col("first.part") != F.col("part")) | (F.col("first.seq") != F.col("seq"))
+    )
     return others.select("part", "seq", F.col("first.page_id").alias("refers_to"))
 
 
@@ -170,10 +197,12 @@ def normalise(folder: str, manifest: DataFrame, to: str) -> None:
     """Rewrite the archives of ``folder`` to ``to``: a gzip member per record and a sidecar index each.
 
     One task per archive streams it once; as many partitions are asked for as there are archives, because the rows
-    that name the work are too narrow for adaptive execution to see its size. The sidecar ``part-NNNNN.warc.gz.idx`` has a JSON line per
-    record with archive, offset, length, page_id and record_type.
+    that name the work are too narrow for adaptive execution to see its size. The sidecar ``part-NNNNN.warc.gz.idx``
+    has a JSON line per record with archive, offset, length, page_id and record_type.
     """
-    parts = manifest.select("part").distinct().select("part", F.lit(-1).cast("bigint").alias("seq"), F.lit(None).cast("bigint").alias("refers_to"))
+    parts = manifest.select("part").distinct().select(
+        "part", F.lit(-1).cast("bigint").alias("seq"), F.lit(None).cast("bigint").alias("refers_to")
+    )
     todo = parts.unionByName(revisits(manifest)).repartition(parts.count(), "part")
 
     def rewrite(group: pd.DataFrame) -> pd.DataFrame:
@@ -184,13 +213,28 @@ def normalise(folder: str, manifest: DataFrame, to: str) -> None:
         with source.open_input_stream(f"{base}/{name}", compression=None) as stream:
             for seq, (headers, block) in enumerate(records(inflated(stream))):
                 page = headers["warc-record-id"].split(":")[2]
-                out = {"WARC-Type": "response", "WARC-Record-ID": headers["warc-record-id"], "WARC-Date": headers["warc-date"], "WARC-Target-URI": headers["warc-target-uri"], "WARC-Payload-Digest": headers["warc-payload-digest"], "Content-Type": headers["content-type"]}
+                out = {
+                    "WARC-Type": "response",
+                    "WARC-Record-ID": headers["warc-record-id"],
+                    "WARC-Date": headers["warc-date"],
+                    "WARC-Target-URI": headers["warc-target-uri"],
+                    "WARC-Payload-Digest": headers["warc-payload-digest"],
+                    "Content-Type": headers["content-type"],
+                }
                 if seq in moved:
                     refers = "" if pd.isna(moved[seq]) else int(moved[seq])
                     out |= {"WARC-Type": "revisit", "WARC-Refers-To": f"<urn:page:{refers}>", "WARC-Profile": PROFILE}
                     block = block[: block.index(b"\r\n\r\n") + 4]
                 member = _member(record(out, block))
-                index.append({"archive": name, "offset": target.offset, "length": len(member), "page_id": int(page) if page else None, "record_type": out["WARC-Type"]})
+                index.append(
+                    {
+                        "archive": name,
+                        "offset": target.offset,
+                        "length": len(member),
+                        "page_id": int(page) if page else None,
+                        "record_type": out["WARC-Type"],
+                    }
+                )
                 target.write(member)
         target.close()
         sidecar = _Target(to, f"{name}.idx")
@@ -213,7 +257,15 @@ def read_records(index: DataFrame, folder: str) -> DataFrame:
     A response's size and digest are taken from its payload; a revisit's from its headers (the kept
     HTTP Content-Length and the payload digest). Stretches of an archive are read by different tasks.
     """
-    schema = pa.schema([("page_id", pa.int64()), ("payload_bytes", pa.int64()), ("payload_digest", pa.string()), ("record_type", pa.string()), ("refers_to", pa.int64())])
+    schema = pa.schema(
+        [
+            ("page_id", pa.int64()),
+            ("payload_bytes", pa.int64()),
+            ("payload_digest", pa.string()),
+            ("record_type", pa.string()),
+            ("refers_to", pa.int64()),
+        ]
+    )
 
     def page_of(name: str | None) -> int | None:
         part = name.strip("<>").split(":")[2] if name else ""
@@ -232,15 +284,29 @@ def read_records(index: DataFrame, folder: str) -> DataFrame:
                 head, _, payload = block.partition(b"\r\n\r\n")
                 response = headers["warc-type"] == "response"
                 size = len(payload) if response else int(parse(head)["content-length"])
-                digest = hashlib.sha256(payload).hexdigest() if response else headers["warc-payload-digest"].removeprefix("sha256:")
-                rows.append((page_of(headers["warc-record-id"]), size, digest, headers["warc-type"], page_of(headers.get("warc-refers-to"))))
+                digest = hashlib.sha256(payload).hexdigest() if response else headers[
+                    "warc-payload-digest"
+                ].removeprefix("sha256:")
+                rows.append(
+                    (
+                        page_of(headers["warc-record-id"]),
+                        size,
+                        digest,
+                        headers["warc-type"],
+                        page_of(headers.get("warc-refers-to")),
+                    )
+                )
             if rows:
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), schema.types)], schema=schema)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c, t) for c, t in zip(zip(*rows), schema.types)], schema=schema
+                )
 
     stretch = (F.col("offset") / STRETCH).cast("bigint").alias("stretch")
     n = max(1, index.select("archive", stretch).distinct().count())
     dealt = index.repartition(n, "archive", stretch).sortWithinPartitions("archive", "offset")
-    return dealt.select("archive", "offset", "length").mapInArrow(read, "page_id bigint, payload_bytes bigint, payload_digest string, record_type string, refers_to bigint")
+    return dealt.select("archive", "offset", "length").mapInArrow(
+        read, "page_id bigint, payload_bytes bigint, payload_digest string, record_type string, refers_to bigint"
+    )
 
 
 def archive_and_read(pages: DataFrame) -> DataFrame:
@@ -254,6 +320,8 @@ def archive_and_read(pages: DataFrame) -> DataFrame:
     whole, members = shared_folder(spark, "warc-whole"), shared_folder(spark, "warc-members")
     manifest = write_monolithic(pages, whole)
     if manifest.isEmpty():
-        return spark.createDataFrame([], "page_id bigint, payload_bytes bigint, payload_digest string, record_type string, refers_to bigint")
+        return spark.createDataFrame(
+            [], "page_id bigint, payload_bytes bigint, payload_digest string, record_type string, refers_to bigint"
+        )
     normalise(whole, manifest, members)
     return read_records(read_index(spark, members), members)
