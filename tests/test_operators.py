@@ -251,6 +251,34 @@ def test_quarters_without_third_and_late_third(spark):
     assert [(x.trade_date, x.ttm_eps, x.pe_ratio) for x in v][0] == (D(2024, 5, 1), 4.0, 2.0) and len(v) == 2
 
 
+def test_quarters_of_filings_with_comparatives_and_other_statements(spark):
+    """Equity is the quarter's last day's, earnings are the income statement's; two values of one fact are none."""
+    on, end, closed = T(2020, 5, 1), D(2020, 3, 31), D(2019, 12, 31)
+    reports = [(1, "1", 2020, 1, "consolidated", on, on), (2, "2", 2020, 1, "individual", on, on)]
+    facts = [
+        (1, "balance_sheet", "31XX", None, end, 100),
+        (1, "balance_sheet", "31XX", None, closed, 90),
+        (1, "statement_of_equity", "31XX", None, end, 80),
+        (1, "income_statement", "8610", D(2020, 1, 1), end, 5),
+        (1, "income_statement", "8610", D(2019, 1, 1), D(2019, 3, 31), 4),
+        (1, "cash_flow_statement", "8610", D(2020, 1, 1), end, 7),
+        (2, "balance_sheet", "3XXX", None, end, 100),
+        (2, "balance_sheet", "3XXX", None, end, 101),
+        (2, "income_statement", "8200", D(2020, 1, 1), end, 6),
+        (2, "income_statement", "8610", D(2020, 1, 1), end, 9),
+    ]
+    r = spark.createDataFrame(
+        reports,
+        "id bigint, stock_id string, report_year int, report_quarter int, report_category string, published_at timestamp_ntz, recorded_at timestamp_ntz",
+    )
+    f = spark.createDataFrame(
+        facts,
+        "report_id bigint, statement string, account_code string, period_start date, period_end date, value bigint",
+    )
+    got = {x.stock_id: (x.income, x.equity) for x in valuation.quarter_values(valuation.report_inputs(r, f)).collect()}
+    assert got == {"1": (5, 100), "2": (6, None)}
+
+
 def test_append_keeps_a_b_a(spark):
     stored = spark.createDataFrame(
         [("k", T(2024, 1, 1), 1), ("k", T(2024, 1, 2), 2)], "k string, recorded_at timestamp_ntz, v int"

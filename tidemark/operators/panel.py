@@ -160,8 +160,9 @@ def distribution_rows(wide: DataFrame, labels: Sequence[str], keys: Sequence[str
 
 
 def report_lines(facts: DataFrame, accounts: Mapping[str, Mapping[str, str]], basis: Column, want: str) -> DataFrame:
-    """Named lines per report from category-specific accounts at one basis (I14). Conflicting duplicates give null and
-    set ``conflict``; Q4 has no single quarter of its own, which ``quarter_missing`` says."""
+    """Named lines per report from category-specific accounts at one basis (I14). Facts of whatever statements the caller
+    chose count. Conflicting duplicates give null and set ``conflict``; Q4 has no single quarter of its own, which
+    ``quarter_missing`` says."""
     tagged = facts.withColumn("__b", basis)
     cols, conflict = [], F.lit(False)
     for line, by_category in accounts.items():

@@ -54,7 +54,9 @@ def quarter_values(inputs: DataFrame) -> DataFrame:
     """One row per report: single-quarter EPS and net income, and equity.
 
     Q1 is its year to date; Q2 and Q3 their own quarter; Q4 the annual value less Q3's year to date (null without it)
-    and public when both are. Accounts follow the report's category. A basis with two different values is null (F32).
+    and public when both are. Accounts follow the report's category; earnings are read from the income statement and
+    equity from the balance sheet, at the quarter's last day, so comparative figures and other statements that name the
+    same accounts don't count. A basis with two different values is null (F32).
     """
     key = ["stock_id", "report_year", "report_quarter", "published_on"]
     basis = period_basis(F.col("report_year"), F.col("report_quarter"), F.col("period_start"), F.col("period_end"))
@@ -64,10 +66,13 @@ def quarter_values(inputs: DataFrame) -> DataFrame:
     tagged = inputs.withColumn("__b", basis)
 
     def one(account: Column | str, kind: str) -> Column:
-        v = F.when((F.col("account_code") == account) & (F.col("__b") == kind), F.col("value"))
+        earned = (F.col("statement") == "income_statement") & (F.col("account_code") == account)
+        v = F.when(earned & (F.col("__b") == kind), F.col("value"))
         return F.when(F.min(v) == F.max(v), F.max(v))
 
-    eq = F.when((F.col("account_code") == equity) & F.col("period_start").isNull(), F.col("value"))
+    closing = F.col("period_start").isNull() & (F.col("period_end") == quarter_end(F.col("report_year"), F.col("report_quarter")))
+    owned = (F.col("statement") == "balance_sheet") & (F.col("account_code") == equity)
+    eq = F.when(owned & closing, F.col("value"))
     cols = [F.when(F.min(eq) == F.max(eq), F.max(eq)).alias("equity")]
     for name, account in (("eps", F.lit(EPS_ACCOUNT)), ("income", income)):
         cols += [one(account, b).alias(f"{name}_{b}") for b in ("quarter", "year_to_date", "annual")]

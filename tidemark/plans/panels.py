@@ -134,7 +134,8 @@ def reports(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def facts(reports: DataFrame) -> DataFrame:
-    """Facts of report versions: EPS and income by basis, equity as an instant."""
+    """Facts of report versions: EPS and income by basis, equity as an instant; beside these, as filings have them, last
+    year's closing equity and quarter, and the income again in the statement of cash flows."""
     y, q = F.col("report_year"), F.col("report_quarter")
     end = F.last_day(F.make_date(y, q * 3, F.lit(1)))
     start, year = F.make_date(y, q * 3 - 2, F.lit(1)), F.make_date(y, F.lit(1), F.lit(1))
@@ -142,12 +143,12 @@ def facts(reports: DataFrame) -> DataFrame:
     equity = F.when(F.col("report_category") == "consolidated", "31XX").otherwise("3XXX")
     cum = F.col("total") * q
 
-    def fact(statement, account, since, value):
+    def fact(statement, account, since, value, until=end):
         return F.struct(
             F.lit(statement).alias("statement"),
             account.alias("account_code"),
             since.alias("period_start"),
-            end.alias("period_end"),
+            until.alias("period_end"),
             value.cast("bigint").alias("value"),
         )
 
@@ -158,6 +159,10 @@ def facts(reports: DataFrame) -> DataFrame:
         fact("income_statement", income, start, F.col("total")),
         fact("income_statement", income, year, cum),
         fact("balance_sheet", equity, none, F.col("total") * 7 + 1000),
+        fact("balance_sheet", equity, none, F.col("total") * 6 + 900, F.date_sub(year, 1)),
+        fact("income_statement", income, F.add_months(start, -12), F.col("total") - 1, F.last_day(F.add_months(end, -12))),
+        fact("cash_flow_statement", income, start, F.col("total") + 7),
+        fact("cash_flow_statement", income, year, cum + 7),
     )
     return reports.select(
         F.col("id").alias("report_id"), F.explode(items).alias("f")
@@ -209,7 +214,10 @@ CTE = {
             report_quarter = 1 then total % 1000 - 100 else total * report_quarter % 3000 end
             union all select 'income_statement', inc, qs, period_end, total union all select 'income_statement', inc,
             ys, period_end, total * report_quarter union all select 'balance_sheet', eq, null, period_end, total * 7 +
-            1000) f)""",
+            1000 union all select 'balance_sheet', eq, null, ys - 1, total * 6 + 900 union all select
+            'income_statement', inc, (qs - interval 1 year)::date, last_day((period_end - interval 1 year)::date),
+            total - 1 union all select 'cash_flow_statement', inc, qs, period_end, total + 7 union all select
+            'cash_flow_statement', inc, ys, period_end, total * report_quarter + 7) f)""",
     "available": """available as (select v.*, case when recorded_at >= released and recorded_at > settled then
     recorded_at else released end as available_at from (
             select *, trade_date::timestamp + interval 19 hour as released, min(case when recorded_at >=

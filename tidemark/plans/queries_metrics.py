@@ -332,11 +332,19 @@ _Q = f"""{with_('facts')}, ver as (select stock_id, report_year, report_quarter,
     f"""case when min(value) filter ({c}) = max(value) filter ({c}) then max(value) filter ({c}) end as {n}"""
     for n, c
     in [
-        (f"{nm}_{k}", f"account_code = {a} and basis = '{k}'")
+        (
+            f"{nm}_{k}",
+            f"statement = 'income_statement' and account_code = {a} and basis = '{k}' and period_end = last_day(make_date(report_year, report_quarter * 3, 1))",
+        )
         for nm, a in (("eps", "'9750'"), ("income", "inc"))
         for k in "qya"
     ]
-    + [("equity", "account_code = eqa and basis = 'i'")]
+    + [
+        (
+            "equity",
+            "statement = 'balance_sheet' and account_code = eqa and basis = 'i' and period_end = last_day(make_date(report_year, report_quarter * 3, 1))",
+        )
+    ]
 ) + """ from b group by 1, 2, 3, 4),
     quarters as (select w.stock_id, w.report_year, w.report_quarter, w.report_year * 4 + w.report_quarter - 1 as q,
     case when w.report_quarter = 4 then greatest(w.published_on, t.published_on) else w.published_on end as

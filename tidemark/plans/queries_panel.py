@@ -639,10 +639,12 @@ def _(spark, d):
 
 @query(
     "panel_report_lines",
-    f"""{_Q}, y as (select report_id, stock_id, report_year, report_quarter, case when period_start =
+    f"""{_Q}, y as (select report_id, stock_id, report_year, report_quarter, case when period_end <>
+    last_day(make_date(report_year, report_quarter * 3, 1)) then 'o' when period_start =
     make_date(report_year, 1, 1) then case report_quarter when 4 then 'a' when 1 then 'q' else 'y' end when
     period_start is null then 'o' else 'q' end as basis, account_code, value, case when report_category =
-    'consolidated' then '8610' else '8200' end as acc from facts f join reports r on r.id = f.report_id)
+    'consolidated' then '8610' else '8200' end as acc from facts f join reports r on r.id = f.report_id
+    where statement = 'income_statement')
     select report_id, stock_id, report_year, report_quarter, case when min(value) filter (account_code = '9750' and
     basis = 'q') = max(value) filter (account_code = '9750' and basis = 'q') then max(value) filter (account_code =
     '9750' and basis = 'q') end::bigint as eps, max(value) filter (account_code = acc and basis = 'q')::bigint as
@@ -652,7 +654,7 @@ def _(spark, d):
     from tidemark.operators.valuation import period_basis
 
     r = reports(spark, d)
-    f = facts(r).join(
+    f = facts(r).where("statement = 'income_statement'").join(
         r.select(F.col("id").alias("report_id"), "stock_id", "report_year", "report_quarter", "report_category"),
         "report_id",
     )
