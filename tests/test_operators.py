@@ -296,10 +296,10 @@ def test_period_end_is_hidden_until_public(spark):
     )
     changes = spark.createDataFrame(
         [
-            ("1", "n", D(2023, 7, 1), D(2023, 6, 20), "01", "02", T(2023, 6, 20, 17)),
-            ("1", "n", D(2023, 7, 1), D(2023, 6, 20), "01", "03", T(2023, 6, 25)),
+            ("1", "n", "sii", D(2023, 7, 1), D(2023, 6, 20), "01", "02", T(2023, 6, 20, 17)),
+            ("1", "n", "sii", D(2023, 7, 1), D(2023, 6, 20), "01", "03", T(2023, 6, 25)),
         ],
-        "stock_id string, source string, effective_date date, announced_on date, old_industry string, new_industry string, recorded_at timestamp_ntz",
+        "stock_id string, source string, market string, effective_date date, announced_on date, old_industry string, new_industry string, recorded_at timestamp_ntz",
     )
     none = spark.createDataFrame(
         [], "stock_id string, market string, listed_on date, delisted_on date, anchor_code string, anchor_on date"

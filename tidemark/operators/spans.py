@@ -165,6 +165,17 @@ def contains(day: Column, start: str = "listed_on", end: str = "delisted_on") ->
     return (F.col(start).isNull() | (day >= F.col(start))) & (F.col(end).isNull() | (day < F.col(end)))
 
 
+def _changes_within(start: str = "listed_on", end: str = "delisted_on") -> Column:
+    """Whether ``effective_date`` changes the category of the span: one on its first day only says what it begins as."""
+    day = F.col("effective_date")
+    return (F.col(start).isNull() | (F.col(start) < day)) & (F.col(end).isNull() | (day < F.col(end)))
+
+
+def _same(left: DataFrame, right: DataFrame, columns: Sequence[str]) -> list[Column]:
+    """Equality of all ``columns``, where two nulls are equal."""
+    return [left[c].eqNullSafe(right[c]) for c in columns]
+
+
 def members(spans: DataFrame, day: Column) -> DataFrame:
     """Spans that hold a day (H6)."""
     return spans.where(contains(day))
@@ -193,12 +204,11 @@ def change_versions(changes: DataFrame) -> DataFrame:
 
 def anchors(spans: DataFrame, today: DataFrame, quotes: DataFrame, known: Column) -> DataFrame:
     """(span columns, anchor_code, anchor_on) (H9): an open span's category of today's list; an ended span's last
-    quote inside it known by the cutoff."""
+    quote of its market inside it known by the cutoff."""
     q = quotes.where(F.col("recorded_at") <= known).select(
-        F.col("stock_id").alias("__s"), "trade_date", "industry_code", "recorded_at"
+        "stock_id", "market", "trade_date", "industry_code", "recorded_at"
     )
-    inside = (spans.stock_id == F.col("__s")) & contains(F.col("trade_date")) & spans.delisted_on.isNotNull()
-    last = spans.join(q, inside).groupBy(*spans.columns).agg(
+    last = spans.where("delisted_on is not null").join(q, list(KEY)).where(contains(F.col("trade_date"))).groupBy(*spans.columns).agg(
         F.max_by(F.struct("industry_code", "trade_date"), F.struct("trade_date", "recorded_at")).alias("a")
     )
     ended = last.select(
@@ -223,7 +233,8 @@ def category_periods(
     """Periods of each span as an instant sees them (H10, H11): (stock_id, market, industry_code, basis,
     effective_from, effective_to, available_at).
 
-    Per span and effective date the latest public version recorded by ``known`` counts. The first change's old
+    ``versions`` carry the market whose exchange announced them; those of a span's market after its first day and before its
+    end are its own. Per span and effective date the latest public version recorded by ``known`` counts. The first change's old
     category fills the span before it; without recorded changes the anchor fills it all. Periods are clipped to the
     existence of their category (code, market, valid_from, valid_to), split at its rename (``renamed_on``, may be
     null), and shown once available; an end is shown once public: a delisting from its day, a change or a category's
@@ -232,12 +243,9 @@ def category_periods(
     span_key = ["stock_id", "market", "start", "end"]
     s = spans.select("stock_id", "market", F.col("listed_on").alias("start"), F.col("delisted_on").alias("end"))
     v = versions.where(F.col("recorded_at") <= known).select(
-        "stock_id", "effective_date", "old_industry", "new_industry", "recorded_at", "available_at"
+        "stock_id", "market", "effective_date", "old_industry", "new_industry", "recorded_at", "available_at"
     )
-    inside = (F.col("start").isNull() | (F.col("effective_date") >= F.col("start"))) & (
-        F.col("end").isNull() | (F.col("effective_date") < F.col("end"))
-    )
-    j = s.join(v, "stock_id").where(inside)
+    j = s.join(v, ["stock_id", "market"]).where(_changes_within("start", "end"))
     public = F.col("available_at") <= information_as_of
     row = F.struct("old_industry", "new_industry", "available_at")
     day = j.groupBy(*span_key, "effective_date").agg(
@@ -353,74 +361,141 @@ def last_known_category(periods: DataFrame) -> DataFrame:
     return stats.where(~F.col("current")).drop("current")
 
 
-def chain_issues(spans: DataFrame, versions: DataFrame, anchored: DataFrame) -> DataFrame:
-    """(stock_id, effective_date, issue) (H14): changes outside every span, broken links, anchors that disagree with
-    the last change."""
-    latest = versions.groupBy("stock_id", "effective_date").agg(
-        F.max_by(F.struct("old_industry", "new_industry"), "recorded_at").alias("v")
-    ).select("stock_id", "effective_date", "v.*")
-    s = spans.select("stock_id", "listed_on", "delisted_on", "market")
-    outside = latest.join(s, (latest.stock_id == s.stock_id) & contains(latest.effective_date), "left_anti").select(
-        "stock_id", "effective_date", F.lit("outside_span").alias("issue")
-    )
-    w = Window.partitionBy("stock_id").orderBy("effective_date")
-    links = latest.withColumn("__left", F.lag("new_industry").over(w)).where("__left <> old_industry").select(
-        "stock_id", "effective_date", F.lit("broken_link").alias("issue")
-    )
-    last = latest.groupBy("stock_id").agg(
-        F.max_by("new_industry", "effective_date").alias("said"), F.max("effective_date").alias("effective_date")
-    )
-    a = anchored.where("anchor_on is null").select("stock_id", "anchor_code").distinct()
-    wrong = last.join(a, "stock_id").where("said <> anchor_code").select(
-        "stock_id", "effective_date", F.lit("anchor_disagrees").alias("issue")
-    )
-    return outside.unionByName(links).unionByName(wrong)
-
-
-def quote_agreement(quotes: DataFrame, periods: DataFrame, lag_days: int = 10) -> DataFrame:
-    """Quotes against periods per day (H15): agree, no_period, known_lag (the period began within ``lag_days``) or
-    differ."""
-    p = periods.select(
-        F.col("stock_id").alias("__s"), F.col("industry_code").alias("__code"), "effective_from", "effective_to"
-    )
-    hit = (quotes.stock_id == F.col("__s")) & contains(quotes.trade_date, "effective_from", "effective_to")
-    j = quotes.join(p, hit, "left")
-    kind = F.when(F.col("__code").isNull(), "no_period").when(F.col("__code") == F.col("industry_code"), "agree").when(
-        F.date_diff("trade_date", "effective_from") < lag_days, "known_lag"
-    ).otherwise("differ")
-    classes = ("agree", "no_period", "known_lag", "differ")
-    return j.withColumn("__k", kind).groupBy("trade_date").agg(
-        *[F.count_if(F.col("__k") == c).alias(c) for c in classes]
-    )
+SPAN = ("stock_id", "market", "listed_on", "delisted_on")
 
 
-def expected_category(asked: DataFrame, changes: DataFrame, anchored: DataFrame) -> DataFrame:
-    """Category of (stock_id, trade_date) (H16): the next change's old, else the last change's new, else the anchor's.
+def chain_issues(spans: DataFrame, versions: DataFrame, anchored: DataFrame, categories: DataFrame) -> DataFrame:
+    """(span columns, effective_date, issue) where the latest chain of a span doesn't hold together.
 
-    Both as-of lookups are one window over asked days and changes."""
+    ``outside_span``: a change of the span's market that isn't after its first day and before its end. ``broken_link``: a
+    change doesn't start from what the one before it left. ``anchor_disagrees``: an anchor without a day isn't what the last
+    change left; one of a day isn't what the next change after that day starts from (without one: what the last left).
+    ``not_yet_existing`` and ``no_longer_existing``: a piece of the chain lies outside its category's existence (code,
+    market, valid_from, valid_to); without changes the anchor is the only piece. ``effective_date`` is the
+    change's, or the first day of the piece. All is one window per span; only the anchors are joined.
+    """
+    latest = versions.groupBy(*KEY, "effective_date").agg(
+        F.max_by(F.struct("old_industry", "new_industry"), "recorded_at").alias("v")
+    ).select(*KEY, "effective_date", "v.*")
+    placed = spans.select(*SPAN).join(latest, list(KEY)).withColumn("within", _changes_within())
+    outside = placed.where(~F.col("within")).select(*SPAN, "effective_date", F.lit("outside_span").alias("issue"))
+    w = Window.partitionBy(*SPAN).orderBy("effective_date")
+    links = placed.where("within").select(
+        *SPAN, "effective_date", "old_industry", "new_industry",
+        F.lag("new_industry").over(w).alias("left_in"),
+        F.lead("effective_date").over(w).alias("next_on"),
+        F.row_number().over(w).alias("n"),
+    )
+    broken = links.where("left_in <> old_industry").select(*SPAN, "effective_date", F.lit("broken_link").alias("issue"))
+
+    a = anchored.select(*[F.col(c).alias(f"a_{c}") for c in SPAN], "anchor_code", "anchor_on")
+    of_span = [F.col(c).eqNullSafe(F.col(f"a_{c}")) for c in SPAN]
+    after = F.coalesce(F.col("effective_date") > F.col("anchor_on"), F.lit(False))
+    said = links.join(a, of_span).groupBy(*SPAN, "anchor_code").agg(
+        F.min_by(F.when(after, F.struct("old_industry", "effective_date")), F.when(after, F.col("effective_date"))).alias("x"),
+        F.max_by(F.struct("new_industry", "effective_date"), "effective_date").alias("z"),
+    )
+    code = F.coalesce("x.old_industry", "z.new_industry")
+    wrong = said.where(code != F.col("anchor_code")).select(
+        *SPAN,
+        F.coalesce("x.effective_date", "z.effective_date").alias("effective_date"),
+        F.lit("anchor_disagrees").alias("issue"),
+    )
+
+    first = links.where("n = 1").select(
+        *SPAN, F.col("listed_on").alias("since"), F.col("effective_date").alias("until"), F.col("old_industry").alias("code")
+    )
+    rest = links.select(
+        *SPAN, F.col("effective_date").alias("since"), F.coalesce("next_on", "delisted_on").alias("until"),
+        F.col("new_industry").alias("code"),
+    )
+    changed = links.where("n = 1").select(*SPAN)
+    alone = a.join(changed, of_span, "left_anti").select(
+        *[F.col(f"a_{c}").alias(c) for c in SPAN], F.col("a_listed_on").alias("since"),
+        F.col("a_delisted_on").alias("until"), F.col("anchor_code").alias("code"),
+    )
+    pieces = first.unionByName(rest).unionByName(alone).join(
+        categories.select("code", "market", "valid_from", "valid_to"), ["code", "market"]
+    )
+    early = F.col("valid_from").isNotNull() & (F.col("since").isNull() | (F.col("since") < F.col("valid_from")))
+    late = F.col("valid_to").isNotNull() & (F.col("until").isNull() | (F.col("valid_to") < F.col("until")))
+    kinds = F.array(F.when(early, "not_yet_existing"), F.when(late, "no_longer_existing"))
+    ceased = pieces.select(*SPAN, F.col("since").alias("effective_date"), F.explode(F.array_compact(kinds)).alias("issue"))
+    return outside.unionByName(broken).unionByName(wrong).unionByName(ceased)
+
+
+def quote_agreement(quotes: DataFrame, periods: DataFrame, lagging: DataFrame) -> DataFrame:
+    """Quotes against periods per market and day (H15): agree, no_period, known_lag or differ.
+
+    ``lagging`` (stock_id, since, until) are the stocks, and the days from ``since`` to before ``until``, whose quotes are
+    known to follow late.
+    """
+    p = periods.select(
+        "stock_id", "market", F.col("industry_code").alias("__code"), "effective_from", "effective_to"
+    )
+    hit = [
+        quotes.stock_id == p.stock_id,
+        quotes.market == p.market,
+        contains(quotes.trade_date, "effective_from", "effective_to"),
+    ]
+    late = lagging.select(F.col("stock_id").alias("__late"), "since", "until").distinct()
+    shown = quotes.join(p, hit, "left").select(quotes["*"], "__code")
+    slow = (shown.stock_id == late["__late"]) & contains(shown.trade_date, "since", "until")
+    same, differing = F.col("__code") == F.col("industry_code"), shown.join(late, slow, "left_semi").where("__code <> industry_code")
+    known = differing.groupBy("market", "trade_date").agg(F.count("*").alias("known_lag"))
+    counts = shown.groupBy("market", "trade_date").agg(
+        F.count_if(same).alias("agree"),
+        F.count_if(F.col("__code").isNull()).alias("no_period"),
+        F.count_if(F.col("__code").isNotNull() & ~F.coalesce(same, F.lit(False))).alias("apart"),
+    )
+    lag = F.coalesce("known_lag", F.lit(0))
+    return counts.join(known, ["market", "trade_date"], "left").select(
+        "market", "trade_date", "agree", "no_period", lag.alias("known_lag"), (F.col("apart") - lag).alias("differ")
+    )
+
+
+def expected_category(asked: DataFrame, changes: DataFrame, spans: DataFrame, anchored: DataFrame) -> DataFrame:
+    """(stock_id, market, trade_date, announced, expected, basis) of the asked rows.
+
+    ``announced`` is what the market's changes imply: the next one's old category, else the last one's new one.
+    ``expected`` is the next change's old category (``next_change``); without one, in an open span, its anchor of
+    today (``today``); else the anchor of the market's span that holds the day, or of its last ended one (``anchor``).
+    Both as-of lookups are one window over asked days and changes; a span's anchor comes with the span.
+    """
+    none = F.lit(None).cast("string")
     marks = changes.select(
-        "stock_id",
-        F.col("effective_date").alias("trade_date"),
-        F.col("old_industry").alias("o"),
-        F.col("new_industry").alias("n"),
-        F.lit(0).alias("asked"),
-    )
-    rows = asked.select(
-        "stock_id",
-        "trade_date",
-        F.lit(None).cast("string").alias("o"),
-        F.lit(None).cast("string").alias("n"),
-        F.lit(1).alias("asked"),
+        *KEY, F.col("effective_date").alias("trade_date"), F.col("old_industry").alias("o"),
+        F.col("new_industry").alias("n"), F.lit(0).alias("asked"),
     )
-    w = Window.partitionBy("stock_id").orderBy("trade_date", "asked")
+    rows = asked.select(*KEY, "trade_date", none.alias("o"), none.alias("n"), F.lit(1).alias("asked"))
+    w = Window.partitionBy(*KEY).orderBy("trade_date", "asked")
     placed = rows.unionByName(marks).select(
         "*",
         F.first("o", True).over(w.rowsBetween(1, Window.unboundedFollowing)).alias("next_old"),
         F.last("n", True).over(w.rowsBetween(Window.unboundedPreceding, -1)).alias("last_new"),
     ).where("asked = 1")
-    a = anchored.groupBy("stock_id").agg(F.max("anchor_code").alias("anchor_code"))
-    return placed.join(a, "stock_id", "left").select(
-        "stock_id", "trade_date", F.coalesce("next_old", "last_new", "anchor_code").alias("expected")
+    own = spans.join(anchored.select(*SPAN, "anchor_code"), _same(spans, anchored, SPAN), "left").select(
+        *[spans[c] for c in SPAN], "anchor_code"
+    )
+    facts = own.groupBy(*KEY).agg(
+        F.collect_list(F.struct("listed_on", "delisted_on", "anchor_code")).alias("spans"),
+        F.max_by("anchor_code", "delisted_on").alias("ended_code"),
+    )
+    day = F.col("trade_date")
+    holds = lambda s: (s["listed_on"].isNull() | (s["listed_on"] <= day)) & (
+        s["delisted_on"].isNull() | (day < s["delisted_on"])
+    )
+    here = F.get(F.filter("spans", holds), F.lit(0))
+    joined = placed.join(facts, list(KEY), "left").withColumn("here", here)
+    in_open = F.col("here").isNotNull() & F.col("here.delisted_on").isNull()
+    return joined.select(
+        *KEY,
+        "trade_date",
+        F.coalesce("next_old", "last_new").alias("announced"),
+        F.when(F.col("next_old").isNotNull(), F.col("next_old"))
+        .when(in_open, F.col("here.anchor_code"))
+        .otherwise(F.coalesce("here.anchor_code", "ended_code")).alias("expected"),
+        F.when(F.col("next_old").isNotNull(), "next_change").when(in_open, "today").otherwise("anchor").alias("basis"),
     )
 
 

@@ -150,22 +150,34 @@ def _(spark, d):
 
 
 def span_table(spark, d):
-    """Proven spans, one a stock (the last), from users: listed by the first event, ended for some."""
+    """Proven spans from users: listed by the first event, ended for some; every seventh was in the other market for its first
+    eight days."""
     e = table(spark, d, "events").groupBy("user_id").agg(
         F.min(F.col("ts").cast("date")).alias("a"), F.max(F.col("ts").cast("date")).alias("z")
     )
-    u = F.col("user_id")
-    return e.select(
+    u, moved = F.col("user_id"), F.date_add("a", 8)
+    last = e.select(
         u.cast("string").alias("stock_id"),
         F.when(u % 2 == 0, "sii").otherwise("otc").alias("market"),
+        F.when(u % 7 == 0, moved).when(u % 9 != 0, F.col("a")).alias("listed_on"),
+        F.when(u % 5 == 0, F.greatest("z", moved)).alias("delisted_on"),
+    )
+    before = e.where(u % 7 == 0).select(
+        u.cast("string").alias("stock_id"),
+        F.when(u % 2 == 0, "otc").otherwise("sii").alias("market"),
         F.when(u % 9 != 0, F.col("a")).alias("listed_on"),
-        F.when(u % 5 == 0, F.col("z")).alias("delisted_on"),
+        moved.alias("delisted_on"),
     )
+    return last.unionByName(before)
 
 
-_SPANS = """with spans as (select user_id::varchar as stock_id, case when user_id % 2 = 0 then 'sii' else 'otc' end as
-    market, case when user_id % 9 <> 0 then min(ts::date) end as listed_on, case when user_id % 5 = 0 then
-    max(ts::date) end as delisted_on from events group by user_id)"""
+_SPANS = """with users as (select user_id, min(ts::date) as a, max(ts::date) as z from events group by 1),
+    spans as (
+        select user_id::varchar as stock_id, case when user_id % 2 = 0 then 'sii' else 'otc' end as market,
+            case when user_id % 7 = 0 then a + 8 when user_id % 9 <> 0 then a end as listed_on,
+            case when user_id % 5 = 0 then greatest(z, a + 8) end as delisted_on from users
+        union all select user_id::varchar, case when user_id % 2 = 0 then 'otc' else 'sii' end,
+            case when user_id % 9 <> 0 then a end, a + 8 from users where user_id % 7 = 0)"""
 
 
 @query(
@@ -196,7 +208,7 @@ def _(spark, d):
             day("2021-01-01").alias("delisted_on"),
         )
     )
-    r = spans.stock_records(s.select("stock_id"), two)
+    r = spans.stock_records(s.select("stock_id").distinct(), two)
     text = F.array_join(
         F.transform(
             "spans",
@@ -212,17 +224,24 @@ def _(spark, d):
     return r.select("stock_id", "current_market", text.alias("spans"))
 
 
+def other_market(user, event):
+    """The market of a user, every sixth time the other one."""
+    return F.when((user % 2 == 0) != (event % 6 == 0), "sii").otherwise("otc")
+
+
 def changes(spark, d):
     """Category changes from errors: old and new category by event, announced three days before, re-announced for
-    some."""
+    some, every sixth by the other market's exchange."""
     e = table(spark, d, "events").where("event_type = 'error'")
     i = F.col("event_id")
     g = e.groupBy(
         F.col("user_id").cast("string").alias("stock_id"), F.col("ts").cast("date").alias("effective_date")
     ).agg(F.min("event_id").alias("event_id"))
+    market = other_market(F.col("stock_id").cast("int"), i)
     base = g.select(
         "stock_id",
-        F.lit("notice").alias("source"),
+        F.when(market == "sii", "notices").otherwise("otc_notices").alias("source"),
+        market.alias("market"),
         "effective_date",
         F.date_sub("effective_date", 3).alias("announced_on"),
         (i % 5).cast("string").alias("old_industry"),
@@ -238,9 +257,11 @@ def changes(spark, d):
 
 _CHG = """chg0 as (select user_id::varchar as stock_id, ts::date as effective_date, min(event_id) as i from events
     where event_type = 'error' group by 1, 2),
-    chg as (select stock_id, effective_date, effective_date - 3 as announced_on, (i % 5)::varchar as old_industry, (i
+    chg as (select stock_id, case when (stock_id::int % 2 = 0) <> (i % 6 = 0) then 'sii' else 'otc' end as market,
+        effective_date, effective_date - 3 as announced_on, (i % 5)::varchar as old_industry, (i
     % 4 + 1)::varchar as new_industry, (effective_date - 3)::timestamp + interval 20 hour as recorded_at from chg0
-        union all select stock_id, effective_date, effective_date - 3, (i % 5)::varchar, (i % 3 + 1)::varchar,
+        union all select stock_id, case when (stock_id::int % 2 = 0) <> (i % 6 = 0) then 'sii' else 'otc' end,
+        effective_date, effective_date - 3, (i % 5)::varchar, (i % 3 + 1)::varchar,
         effective_date::timestamp + interval 30 hour from chg0 where i % 2 = 0),
     cv0 as (select *, (announced_on + 1)::timestamp - interval 8 hour as released from chg), cv as (select *, case
     when recorded_at >= released and recorded_at > min(case when recorded_at >= released then recorded_at end) over
@@ -265,16 +286,20 @@ def quotes(spark, d):
         F.lit("quote").alias("source"),
         F.col("ts").cast("date").alias("trade_date"),
     ).agg(
-        (F.min("event_id") % 5).cast("string").alias("industry_code"), F.max("ts").alias("recorded_at")
+        other_market(F.col("stock_id").cast("int"), F.min("event_id")).alias("market"),
+        (F.min("event_id") % 5).cast("string").alias("industry_code"),
+        F.max("ts").alias("recorded_at"),
     )
 
 
 _QUOTES = """quotes as (select user_id::varchar as stock_id, ts::date as trade_date, (min(event_id) % 5)::varchar as
-    industry_code, max(ts) as recorded_at from events group by 1, 2)"""
+    industry_code, max(ts) as recorded_at,
+    case when (any_value(user_id) % 2 = 0) <> (min(event_id) % 6 = 0) then 'sii' else 'otc' end as market
+    from events group by 1, 2)"""
 _ANCHOR = f"""{_SPANS}, {_QUOTES}, tod as (select distinct user_id::varchar as stock_id, (user_id % 5)::varchar as c
     from events),
     anc as (select s.*, arg_max(q.industry_code, q.trade_date) as anchor_code, max(q.trade_date) as anchor_on from
-    spans s join quotes q on q.stock_id = s.stock_id and (listed_on is null or trade_date >= listed_on) and trade_date
+    spans s join quotes q on q.stock_id = s.stock_id and q.market = s.market and (listed_on is null or trade_date >= listed_on) and trade_date
     < delisted_on and q.recorded_at <= timestamp '2024-01-25' group by 1, 2, 3, 4
         union all select s.*, c, null from spans s join tod using (stock_id) where delisted_on is null)"""
 
@@ -319,8 +344,8 @@ _PERIODS = f"""{_ANCHOR}, {_CHG},
         from range(5) t(c), (values ('sii'), ('otc')) u(m)),
     inside as (select s.stock_id, s.market, s.listed_on as a, s.delisted_on as z, v.effective_date as e, v.old_industry,
         v.new_industry, v.recorded_at, v.available_at, v.available_at <= timestamp '2024-01-22' as public
-        from spans s join cv v using (stock_id) where v.recorded_at <= timestamp '2024-01-25'
-        and (listed_on is null or effective_date >= listed_on) and (delisted_on is null or effective_date < delisted_on)),
+        from spans s join cv v using (stock_id, market) where v.recorded_at <= timestamp '2024-01-25'
+        and (listed_on is null or listed_on < effective_date) and (delisted_on is null or effective_date < delisted_on)),
     days as (select stock_id, market, a, z, e, arg_max(new_industry, recorded_at) filter (public) as said,
         arg_max(old_industry, recorded_at) filter (public) as was, arg_max(available_at, recorded_at) filter (public) as said_at,
         arg_min(old_industry, recorded_at) as first_was, row_number() over (partition by stock_id, market, a, z order by e) as k
@@ -383,56 +408,93 @@ def overlap_and_last(spark, d):
 
 @query(
     "span_chain_issues",
-    days="effective_date",
-    sql=f"""{_ANCHOR}, {_CHG}, l as (select stock_id, effective_date, arg_max(old_industry, recorded_at) as o,
-    arg_max(new_industry, recorded_at) as n from chg group by 1, 2), w as (select *, lag(n) over (partition by
-    stock_id order by effective_date) as before from l)
-    select l.stock_id, l.effective_date, 'outside_span' as issue from l where not exists (select 1 from spans s where
-    s.stock_id = l.stock_id and (listed_on is null or l.effective_date >= listed_on) and (delisted_on is null or
-    l.effective_date < delisted_on))
-    union all select stock_id, effective_date, 'broken_link' from w where before <> o
-    union all select x.stock_id, x.effective_date, 'anchor_disagrees' from (select stock_id, max(effective_date) as
-    effective_date, arg_max(n, effective_date) as said from l group by 1) x join anc a on a.stock_id = x.stock_id and
-    a.anchor_on is null where said <> anchor_code""",
+    days="listed_on delisted_on effective_date",
+    sql=f"""{_ANCHOR}, {_CHG},
+    cat as (select c::varchar as code, m as market, case when c = 3 then date '2024-01-10' end as valid_from,
+        case when c = 4 then date '2024-01-20' end as valid_to from range(5) t(c), (values ('sii'), ('otc')) u(m)),
+    l as (select stock_id, market, effective_date as e, arg_max(old_industry, recorded_at) as o,
+        arg_max(new_industry, recorded_at) as n from chg group by 1, 2, 3),
+    placed as (select s.*, l.e, l.o, l.n, coalesce(listed_on < e, true) and coalesce(e < delisted_on, true) as within
+        from spans s join l using (stock_id, market)),
+    own as (select *, lag(n) over w as before, lead(e) over w as after, row_number() over w as k from placed where within
+        window w as (partition by stock_id, market, listed_on, delisted_on order by e)),
+    of_anchor as (select a.*, (select arg_min(o, e) from own x where x.stock_id = a.stock_id and x.market = a.market and
+            x.listed_on is not distinct from a.listed_on and x.delisted_on is not distinct from a.delisted_on and e > anchor_on) as later,
+        (select min(e) from own x where x.stock_id = a.stock_id and x.market = a.market and
+            x.listed_on is not distinct from a.listed_on and x.delisted_on is not distinct from a.delisted_on and e > anchor_on) as later_on,
+        (select arg_max(n, e) from own x where x.stock_id = a.stock_id and x.market = a.market and
+            x.listed_on is not distinct from a.listed_on and x.delisted_on is not distinct from a.delisted_on) as last,
+        (select max(e) from own x where x.stock_id = a.stock_id and x.market = a.market and
+            x.listed_on is not distinct from a.listed_on and x.delisted_on is not distinct from a.delisted_on) as last_on
+        from anc a),
+    pieces as (
+        select stock_id, market, listed_on, delisted_on, listed_on as since, e as until, o as code from own where k = 1
+        union all select stock_id, market, listed_on, delisted_on, e, coalesce(after, delisted_on), n from own
+        union all select stock_id, market, listed_on, delisted_on, listed_on, delisted_on, anchor_code from of_anchor where last_on is null)
+    select stock_id, market, listed_on, delisted_on, e as effective_date, 'outside_span' as issue from placed where not within
+    union all select stock_id, market, listed_on, delisted_on, e, 'broken_link' from own where before <> o
+    union all select stock_id, market, listed_on, delisted_on, coalesce(later_on, last_on), 'anchor_disagrees' from of_anchor
+        where coalesce(later, last) <> anchor_code
+    union all select stock_id, market, listed_on, delisted_on, since, 'not_yet_existing' from pieces join cat using (code, market)
+        where coalesce(since, date '1900-01-01') < valid_from
+    union all select stock_id, market, listed_on, delisted_on, since, 'no_longer_existing' from pieces join cat using (code, market)
+        where valid_to < coalesce(until, date '2900-01-01')""",
 )
 def _(spark, d):
-    return spans.chain_issues(span_table(spark, d), changes(spark, d), anchored(spark, d))
+    return spans.chain_issues(span_table(spark, d), changes(spark, d), anchored(spark, d), categories(spark))
 
 
 @query(
     "span_quote_agreement",
     days="trade_date",
-    sql=f"""with {_QUOTES}, p as (select user_id::varchar as stock_id, (user_id % 5)::varchar as c, date '2024-01-03'
-    + (user_id % 10)::int as a, case when user_id % 4 = 0 then date '2024-01-20' end as z from events group by user_id)
-    select q.trade_date, count(*) filter (c = industry_code) as agree, count(*) filter (c is null) as no_period,
-    count(*) filter (c <> industry_code and trade_date - a < 10) as known_lag, count(*) filter (c <> industry_code and
-    trade_date - a >= 10) as differ from quotes q left join p on p.stock_id = q.stock_id and trade_date >= a and (z is
-    null or trade_date < z) group by 1""",
+    sql=f"""with {_QUOTES}, p as (select user_id::varchar as stock_id, case when user_id % 2 = 0 then 'sii' else 'otc' end as market,
+        (user_id % 5)::varchar as c, date '2024-01-03' + (user_id % 10)::int as a,
+        case when user_id % 4 = 0 then date '2024-01-20' end as z from events group by user_id),
+    slow as (select distinct user_id::varchar as stock_id from events where user_id % 3 = 0),
+    x as (select q.*, c, s.stock_id is not null and trade_date >= date '2024-01-08' and trade_date < date '2024-01-16' as late
+        from quotes q left join p on p.stock_id = q.stock_id and p.market = q.market and trade_date >= a
+        and (z is null or trade_date < z) left join slow s on s.stock_id = q.stock_id)
+    select market, trade_date, count(*) filter (c = industry_code) as agree, count(*) filter (c is null) as no_period,
+        count(*) filter (c <> industry_code and late) as known_lag,
+        count(*) filter (c <> industry_code and not late) as differ from x group by 1, 2""",
 )
 def _(spark, d):
     u = F.col("user_id")
-    p = table(spark, d, "events").select("user_id").distinct().select(
+    users = table(spark, d, "events").select("user_id").distinct()
+    p = users.select(
         u.cast("string").alias("stock_id"),
+        F.when(u % 2 == 0, "sii").otherwise("otc").alias("market"),
         (u % 5).cast("string").alias("industry_code"),
         F.date_add(day("2024-01-03"), (u % 10).cast("int")).alias("effective_from"),
         F.when(u % 4 == 0, day("2024-01-20")).alias("effective_to"),
     )
-    return spans.quote_agreement(quotes(spark, d), p)
+    lagging = users.where("user_id % 3 = 0").select(
+        u.cast("string").alias("stock_id"), day("2024-01-08").alias("since"), day("2024-01-16").alias("until")
+    )
+    return spans.quote_agreement(quotes(spark, d), p, lagging)
 
 
 @query(
     "span_expected_category",
     days="trade_date",
-    sql=f"""{_ANCHOR}, {_CHG}, l as (select stock_id, effective_date, arg_max(old_industry, recorded_at) as o,
-    arg_max(new_industry, recorded_at) as n from chg group by 1, 2), a as (select stock_id, max(anchor_code) as c from
-    anc group by 1)
-    select q.stock_id, q.trade_date, coalesce((select arg_min(o, effective_date) from l where l.stock_id = q.stock_id
-    and effective_date > q.trade_date), (select arg_max(n, effective_date) from l where l.stock_id = q.stock_id and
-    effective_date <= q.trade_date), a.c) as expected from quotes q left join a on a.stock_id = q.stock_id""",
+    sql=f"""{_ANCHOR}, {_CHG}, l as (select stock_id, market, effective_date, arg_max(old_industry, recorded_at) as o,
+        arg_max(new_industry, recorded_at) as n from chg group by 1, 2, 3),
+    own as (select s.*, anchor_code from spans s left join anc a on a.stock_id = s.stock_id and a.market = s.market
+        and a.listed_on is not distinct from s.listed_on and a.delisted_on is not distinct from s.delisted_on),
+    x as (select q.stock_id, q.market, q.trade_date,
+        (select arg_min(o, effective_date) from l where l.stock_id = q.stock_id and l.market = q.market and effective_date > q.trade_date) as later,
+        (select arg_max(n, effective_date) from l where l.stock_id = q.stock_id and l.market = q.market and effective_date <= q.trade_date) as earlier,
+        (select arg_max(anchor_code, delisted_on) from own s where s.stock_id = q.stock_id and s.market = q.market) as ended,
+        s.stock_id is not null and s.delisted_on is null as in_open, s.anchor_code
+        from quotes q left join own s on s.stock_id = q.stock_id and s.market = q.market and coalesce(listed_on <= trade_date, true)
+        and coalesce(trade_date < delisted_on, true))
+    select stock_id, market, trade_date, coalesce(later, earlier) as announced,
+        case when later is not null then later when in_open then anchor_code else coalesce(anchor_code, ended) end as expected,
+        case when later is not null then 'next_change' when in_open then 'today' else 'anchor' end as basis from x""",
 )
 def _(spark, d):
     latest = pit.latest_per_key(changes(spark, d), ["stock_id", "source", "effective_date"])
-    return spans.expected_category(quotes(spark, d), latest, anchored(spark, d))
+    return spans.expected_category(quotes(spark, d), latest, span_table(spark, d), anchored(spark, d))
 
 
 @query(
