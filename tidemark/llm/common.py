@@ -80,16 +80,16 @@ def text_udf(make: Callable[[], Callable[[list], pa.Array]], schema: str):
     """An Arrow UDF over a text column.
 
     ``make`` runs once per task and returns a function from a list of texts (None for null) to an Arrow array of type
-    ``schema``; it gets ``SLICE`` texts at a time, which bounds what a task holds as Python objects, and what it
-    returns is joined to one array per Arrow batch. Marked nondeterministic so that Catalyst keeps one evaluation
+    ``schema``; it gets ``SLICE`` texts at a time and what it returns is sent on at once, which bounds what a task holds
+    on either side. Marked nondeterministic so that Catalyst keeps one evaluation
     where several fields of the result are used.
     """
 
     def apply(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         work = make()
         for batch in batches:
-            parts = [work(batch.slice(at, SLICE).to_pylist()) for at in range(0, len(batch), SLICE)]
-            yield pa.concat_arrays(parts) if parts else work([])
+            for at in range(0, len(batch), SLICE):
+                yield work(batch.slice(at, SLICE).to_pylist())
         del work
         release_memory()
 

@@ -13,6 +13,7 @@ task; beyond it hashes (never texts) are dealt to the shards, each of which is d
 
 from __future__ import annotations
 
+import itertools
 import math
 from collections.abc import Callable, Iterator
 
@@ -22,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import ASCII_LOWER, SLICE, listed, release_memory, written
+from tidemark.llm.common import ASCII_LOWER, SLICE, listed, release_memory, struct_array, written
 
 MIN_CHARS, MIN_DOCS = 40, 5
 #: Keys of a shard, on average.
@@ -151,7 +152,6 @@ def _hashed(docs: DataFrame, id_col: str, text_col: str, min_chars: int, *more:
 
     def apply(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
-            parts = []
             for at in range(0, len(batch), SLICE):
                 offsets, digests = [0], []
                 for text in batch.slice(at, SLICE).to_pylist():
@@ -159,12 +159,8 @@ def _hashed(docs: DataFrame, id_col: str, text_col: str, min_chars: int, *more:
                     offsets.append(len(digests))
                 halves = _halves(digests).view(np.int64)
                 both = [pa.array(np.ascontiguousarray(halves[:, k])) for k in (0, 1)]
-                parts.append(
-                    pa.ListArray.from_arrays(
-                        pa.array(offsets, pa.int32()), pa.StructArray.from_arrays(both, fields=list(_HASH))
-                    )
-                )
-            yield pa.concat_arrays(parts) if parts else pa.array([], pa.list_(_HASH))
+                hashes = pa.StructArray.from_arrays(both, fields=list(_HASH))
+                yield pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), hashes)
         release_memory()
 
     hashes = F.arrow_udf(apply, "array<struct<hi: bigint, lo: bigint>>")(F.col(text_col))
@@ -209,27 +205,27 @@ def _rewritten(docs: DataFrame, id_col: str, text_col: str, min_chars: int, fall
     def work(texts: list, ids: list, *rest: list) -> pa.Array:
         lines = [(t or "").split("\n") for t in texts]
         found = [line_digests(x, min_chars) for x in lines]
-        of = np.repeat(np.arange(len(texts)), [len(at) for at, _ in found])
+        sizes = np.fromiter((len(at) for at, _ in found), np.int64, len(texts))
+        of = np.repeat(np.arange(len(texts)), sizes)
         numbers = np.array([NO_ID if i is None else i for i in ids], np.int64)
         gone = falls(_halves([d for _, own in found for d in own]), numbers[of], of, *rest)
-        ends = np.cumsum([len(at) for at, _ in found])
-        kept, dropped = [], np.add.reduceat(np.append(gone, False), ends - [len(at) for at, _ in found], dtype=np.int64)
-        for i, (own, (at, _), end) in enumerate(zip(lines, found, ends.tolist())):
-            if not at or not (bad := set(np.array(at)[gone[end - len(at) : end]].tolist())):
-                dropped[i] = 0
-                kept.append(texts[i] or "")
-            else:
-                kept.append("\n".join([line for k, line in enumerate(own) if k not in bad]))
-        return pa.StructArray.from_arrays(
-            [pa.array([len(x) for x in lines], pa.int64()), pa.array(dropped), pa.array(kept, pa.string())],
-            ["n_lines", "n_dropped", "kept_text"],
+        kept, dropped, ends = [], [], np.cumsum(sizes).tolist()
+        for own, (at, _), end in zip(lines, found, ends):
+            bad = set(itertools.compress(at, gone[end - len(at) : end].tolist()))
+            dropped.append(len(bad))
+            kept.append("\n".join([line for k, line in enumerate(own) if k not in bad]))
+        return struct_array(
+            {
+                "n_lines": ([len(x) for x in lines], pa.int64()),
+                "n_dropped": (dropped, pa.int64()),
+                "kept_text": (kept, pa.string()),
+            }
         )
 
     def apply(batches: Iterator[tuple[pa.Array, ...]]) -> Iterator[pa.Array]:
         for batch in batches:
-            cut = range(0, len(batch[0]), SLICE)
-            parts = [work(*[column.slice(at, SLICE).to_pylist() for column in batch]) for at in cut]
-            yield pa.concat_arrays(parts) if parts else work([], [], *[[] for _ in more])
+            for at in range(0, len(batch[0]), SLICE):
+                yield work(*[column.slice(at, SLICE).to_pylist() for column in batch])
         release_memory()
 
     made = F.arrow_udf(apply, out).asNondeterministic()(F.col(text_col), F.col(id_col).cast("bigint"), *map(F.col, more))
