@@ -1,6 +1,7 @@
 """Hand-made scenarios whose answers are known, and plain restatements of the recurrences."""
 
 import datetime as dt
+import json
 import math
 import random
 
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tidemark.datasets import OBSERVED, dataset
 from tidemark.functions import instants, scalar
-from tidemark.operators import append, derived, incremental, metrics, panel, pit, reads, rolling, spans, validate, valuation
+from tidemark.operators import append, derived, incremental, metrics, panel, pit, reads, reconcile, rolling, spans, validate, valuation
 from tidemark.sources import payloads, tables
 
 D, T = dt.date, dt.datetime
@@ -662,3 +663,150 @@ def test_incremental_runs_touch_changed_series_only(spark):
         last = touched.orderBy(F.desc("trade_date")).first()
         assert last[column] == 901 and {r.stock_id for r in touched.select("stock_id").distinct().collect()} == {"1"}
         assert derived.merged(stored, touched).count() == 1801
+
+
+def test_sessions_rank_any_day(spark):
+    calendar = spark.createDataFrame([(D(2024, 1, d),) for d in (4, 5, 8, 9, 10)], "trade_date date")
+    sessions = reconcile.Sessions(calendar)
+    days = [D(2023, 12, 1), D(2024, 1, 4), D(2024, 1, 6), D(2024, 1, 7), D(2024, 1, 10), D(2024, 2, 1), None]
+    rows = spark.createDataFrame([(i, d) for i, d in enumerate(days)], "i int, d date")
+    got = rows.select(
+        sessions.through(F.col("d")), sessions.before(F.col("d")), sessions.nth(F.col("d"), F.lit(D(2024, 1, 9)))
+    ).orderBy("i").collect()
+    assert [tuple(r) for r in got[:-1]] == [(0, 0, 4), (1, 0, 4), (2, 2, 2), (2, 2, 2), (5, 4, 0), (5, 5, -1)]
+    assert tuple(got[-1]) == (None, None, None)
+    assert reconcile.Sessions(calendar.limit(0)).total == 0
+
+
+def test_gaps_with_all_details(spark):
+    """One stock a detail; a listing on a Sunday, in another market, limits of one and of only one of two events."""
+    calendar = spark.createDataFrame([(D(2024, 1, d),) for d in range(1, 32) if d % 7 not in (0, 6)], "trade_date date")
+    day = lambda d: D(2024, 1, d)
+    bars, events, spans_ = [], [], []
+    for stock in ("sunday", "market", "start", "within", "half", "action", "none", "unknown"):
+        first = 1 if stock != "start" else 11
+        bars += [(stock, "alpha", day(first), None, None), (stock, "alpha", day(first + 1), 10.0, 9.0)]
+        bars += [(stock, "alpha", day(15), 90.0, None if stock == "unknown" else 90.0)]
+    spans_ = [("sunday", "sii", day(14)), ("market", "otc", day(14)), ("none", "sii", day(16)), ("start", "sii", None)]
+    events = [("within", "alpha", day(15), "f1"), ("half", "alpha", day(15), "f1"), ("half", "alpha", day(15), "f2")]
+    events += [("action", "alpha", day(9), "f1")]
+    body = lambda *rows: json.dumps({"tables": [{"fields": ["date", "code", "漲停價格", "跌停價格"], "data": rows}]})
+    store = spark.createDataFrame(
+        [
+            ("s1", body(["113年01月15日", " within ", "1,021.0", "9.5"], ["113年01月15日", "half", "300", "9"], ["x", "y", "-", "1"])),
+            ("s2", body(["113年01月15日", "half", "-", "9"])),
+            ("s3", json.dumps({"fields": ["date", "code"], "data": [["113年01月15日", "half"]]})),
+        ],
+        "sha256 string, content string",
+    )
+    limits = payloads.published_limits(store)
+    assert {(r.sha256, r.stock_id, r.trade_date, float(r.limit_down), float(r.limit_up)) for r in limits.collect()} == {
+        ("s1", "within", day(15), 9.5, 1021.0), ("s1", "half", day(15), 9.0, 300.0)
+    }
+    fetches = spark.createDataFrame([("f1", "s1"), ("f2", "s2")], "fetch_id string, sha256 string")
+    e = spark.createDataFrame(events, "stock_id string, source string, ex_date date, fetch_id string")
+    allowed = reconcile.event_limits(e, fetches, limits)
+    assert [tuple(map(str, r)) for r in allowed.collect()] == [("within", "alpha", "2024-01-15", "9.500000", "1021.000000")]
+    got = reconcile.classify_gaps(
+        spark.createDataFrame(bars, "stock_id string, source string, trade_date date, close double, adjusted_close double"),
+        e,
+        reconcile.Sessions(calendar),
+        spark.createDataFrame(spans_, "stock_id string, market string, listed_on date"),
+        {"alpha": "sii"},
+        F.lit(day(1)),
+        allowed,
+    )
+    shown = {(r.stock_id, r.kind): r.detail if r.detail else r.reason for r in got.where("sessions >= 0").collect()}
+    assert shown[("sunday", "raw")] == shown[("sunday", "adjusted")] == "new_listing"
+    assert shown[("market", "raw")] == shown[("none", "adjusted")] == "unexplained_anomaly"
+    assert shown[("start", "raw")] == "series_start"
+    assert shown[("within", "raw")] == "corporate_action" and shown[("within", "adjusted")] == "within_published_limits"
+    assert shown[("half", "adjusted")] == shown[("action", "adjusted")] == "corporate_action"
+    assert shown[("unknown", "adjusted")] == "unknown" and shown[("unknown", "raw")] == "unexplained_anomaly"
+
+
+def test_chain_issues_by_span(spark):
+    """A stock that left one market in B and entered another in C has no broken link; each kind of issue, once."""
+    span = "stock_id string, market string, listed_on date, delisted_on date"
+    s = spark.createDataFrame(
+        [
+            ("two", "otc", D(2020, 1, 1), D(2021, 1, 1)), ("two", "sii", D(2021, 1, 1), None),
+            ("first", "sii", D(2020, 5, 1), None), ("link", "sii", None, None), ("quoted", "otc", D(2020, 1, 1), D(2022, 1, 1)),
+            ("ceased", "sii", D(2020, 1, 1), None), ("anchor", "sii", D(2019, 1, 1), None),
+        ],
+        span,
+    )
+    rows = [
+        ("two", "otc", D(2020, 6, 1), "A", "B"), ("two", "sii", D(2021, 6, 1), "C", "A"),
+        ("first", "sii", D(2020, 5, 1), "A", "B"), ("link", "sii", D(2020, 2, 1), "A", "B"),
+        ("link", "sii", D(2020, 3, 1), "C", "A"), ("quoted", "otc", D(2021, 6, 1), "B", "A"),
+        ("ceased", "sii", D(2020, 6, 1), "A", "OLD"),
+    ]
+    versions = spark.createDataFrame(
+        [(a, m, d, o, n, T(2020, 1, 1)) for a, m, d, o, n in rows],
+        "stock_id string, market string, effective_date date, old_industry string, new_industry string, recorded_at timestamp_ntz",
+    )
+    anchored = spark.createDataFrame(
+        [
+            ("two", "sii", D(2021, 1, 1), None, "B", None), ("first", "sii", D(2020, 5, 1), None, "B", None),
+            ("quoted", "otc", D(2020, 1, 1), D(2022, 1, 1), "B", D(2021, 5, 1)), ("link", "sii", None, None, "A", None),
+            ("anchor", "sii", D(2019, 1, 1), None, "NEW", None),
+        ],
+        f"{span}, anchor_code string, anchor_on date",
+    )
+    cats = spark.createDataFrame(
+        [("OLD", "sii", None, D(2023, 7, 3)), ("NEW", "sii", D(2021, 1, 1), None), ("A", "sii", None, None)],
+        "code string, market string, valid_from date, valid_to date",
+    )
+    got = {(r.stock_id, r.effective_date, r.issue) for r in spans.chain_issues(s, versions, anchored, cats).collect()}
+    assert got == {
+        ("two", D(2021, 6, 1), "anchor_disagrees"), ("first", D(2020, 5, 1), "outside_span"),
+        ("link", D(2020, 3, 1), "broken_link"), ("ceased", D(2020, 6, 1), "no_longer_existing"),
+        ("anchor", D(2019, 1, 1), "not_yet_existing"),
+    }
+
+
+def test_change_on_the_listing_day_leaves_the_anchor(spark):
+    s = spark.createDataFrame(
+        [("1", "sii", D(2020, 5, 1), None)], "stock_id string, market string, listed_on date, delisted_on date"
+    )
+    changes = [("1", "n", "sii", D(2020, 5, 1), D(2020, 4, 20), "A", "B", T(2020, 4, 20)), ("1", "m", "otc", D(2020, 6, 1), D(2020, 4, 20), "A", "D", T(2020, 4, 20))]
+    v = spans.change_versions(spark.createDataFrame(
+        changes,
+        "stock_id string, source string, market string, effective_date date, announced_on date, old_industry string, new_industry string, recorded_at timestamp_ntz",
+    ))
+    anchored = s.withColumns({"anchor_code": F.lit("C"), "anchor_on": F.lit(None).cast("date")})
+    cats = spark.createDataFrame([("C", "sii", None, None, None)], "code string, market string, valid_from date, valid_to date, renamed_on date")
+    p = spans.category_periods(s, v, anchored, cats, ts("2024-01-01"), ts("2024-01-01"), ts("2020-01-01"))
+    assert [(r.industry_code, r.basis, r.effective_from) for r in p.collect()] == [("C", "anchor", D(2020, 5, 1))]
+
+
+def test_expectation_and_agreement_by_market(spark):
+    span = "stock_id string, market string, listed_on date, delisted_on date"
+    s = spark.createDataFrame(
+        [("1", "otc", D(2020, 1, 1), D(2021, 1, 1)), ("1", "sii", D(2021, 1, 1), None), ("2", "otc", None, D(2020, 3, 1))], span
+    )
+    anchored = spark.createDataFrame(
+        [("1", "otc", D(2020, 1, 1), D(2021, 1, 1), "B", None), ("1", "sii", D(2021, 1, 1), None, "Z", None), ("2", "otc", None, D(2020, 3, 1), "Q", None)],
+        f"{span}, anchor_code string, anchor_on date",
+    )
+    changes = spark.createDataFrame(
+        [("1", "otc", D(2020, 6, 1), "A", "B")],
+        "stock_id string, market string, effective_date date, old_industry string, new_industry string",
+    )
+    days = [("1", "otc", D(2020, 3, 1)), ("1", "otc", D(2020, 7, 1)), ("1", "sii", D(2021, 7, 1)), ("2", "otc", D(2020, 5, 1)), ("3", "otc", D(2020, 5, 1))]
+    asked = spark.createDataFrame(days, "stock_id string, market string, trade_date date")
+    got = {(r.stock_id, r.market, r.trade_date): (r.announced, r.expected, r.basis) for r in spans.expected_category(asked, changes, s, anchored).collect()}
+    assert [got[d] for d in days] == [
+        ("A", "A", "next_change"), ("B", "B", "anchor"), (None, "Z", "today"), (None, "Q", "anchor"), (None, None, "anchor")
+    ]
+    quotes = asked.withColumns({"industry_code": F.lit("B")})
+    periods = spark.createDataFrame(
+        [("1", "otc", "A", D(2020, 1, 1), D(2020, 6, 1)), ("1", "otc", "B", D(2020, 6, 1), None), ("1", "sii", "C", None, None)],
+        "stock_id string, market string, industry_code string, effective_from date, effective_to date",
+    )
+    lagging = spark.createDataFrame([("1", D(2020, 3, 1), D(2020, 3, 2))], "stock_id string, since date, until date")
+    rows = {(r.market, r.trade_date): (r.agree, r.no_period, r.known_lag, r.differ) for r in spans.quote_agreement(quotes, periods, lagging).collect()}
+    assert rows == {
+        ("otc", D(2020, 3, 1)): (0, 0, 1, 0), ("otc", D(2020, 7, 1)): (1, 0, 0, 0), ("sii", D(2021, 7, 1)): (0, 0, 0, 1), ("otc", D(2020, 5, 1)): (0, 2, 0, 0)
+    }

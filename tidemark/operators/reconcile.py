@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
+from bisect import bisect_right
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.operators.sizes import small
-
 SERIES = ("stock_id", "source")
 
 
@@ -243,12 +242,42 @@ def valuation_classes(
     return j.select(*keys, "mine", "their_value", kind.alias("diff_class"))
 
 
-def session_index(calendar: DataFrame) -> DataFrame:
-    """Trading days numbered from 1 (J13); the difference of two numbers is the sessions between them. A calendar is
-    small."""
-    return calendar.select("trade_date").distinct().withColumn(
-        "session", F.row_number().over(Window.partitionBy(F.lit(0)).orderBy("trade_date"))
-    )
+class Sessions:
+    """Trading days that any day, traded or not, is ranked among.
+
+    The calendar (a row a day, at most ``MOST`` days) becomes one array literal with the number of trading days up to each
+    calendar day, so a rank is an array lookup in the row: no join, no window over the calendar.
+    """
+
+    MOST = 200_000
+
+    def __init__(self, calendar: DataFrame):
+        days = [r[0] for r in calendar.select("trade_date").where("trade_date is not null").distinct().limit(self.MOST + 1).collect()]
+        if len(days) > self.MOST:
+            raise ValueError("a calendar has a row a day")
+        self.first, numbers = min(days, default=None), sorted(d.toordinal() for d in days)
+        ranks = [bisect_right(numbers, n) for n in range(numbers[0], numbers[-1] + 1)] if numbers else []
+        self.total, self.ranks = len(numbers), F.split(F.lit(",".join(map(str, ranks))), ",").cast("array<int>")
+
+    def through(self, day: Column) -> Column:
+        """Trading days up to ``day``, itself included."""
+        if self.first is None:
+            return F.when(day.isNotNull(), 0)
+        at = F.date_diff(day, F.lit(self.first))
+        found = F.get(self.ranks, F.greatest(at, F.lit(0)))
+        return F.when(at < 0, 0).when(day.isNotNull(), F.coalesce(found, F.lit(self.total)))
+
+    def before(self, day: Column) -> Column:
+        """Trading days before ``day``."""
+        return self.through(F.date_sub(day, 1))
+
+    def between(self, after: Column, through: Column) -> Column:
+        """Sessions after one day and up to another."""
+        return self.through(through) - self.through(after)
+
+    def nth(self, start: Column, day: Column) -> Column:
+        """The how manieth trading day ``day`` is since ``start``, which need not be one."""
+        return self.through(day) - self.before(start)
 
 
 def beyond_limit(ratio: Column, sessions: Column, limit: float = 0.1) -> Column:
@@ -256,86 +285,103 @@ def beyond_limit(ratio: Column, sessions: Column, limit: float = 0.1) -> Column:
     return (ratio > F.pow(F.lit(1 + limit), sessions) + 1e-9) | (ratio < F.pow(F.lit(1 - limit), sessions) - 1e-9)
 
 
+def event_limits(events: DataFrame, fetches: DataFrame, limits: DataFrame) -> DataFrame:
+    """(series, ex_date, lowest, highest): the closes that the published limits of all events of a series' day allow.
+
+    An event's limits stand in the payload its fetch stored: ``fetches`` (fetch_id, sha256) leads from one to the other,
+    ``limits`` (sha256, stock_id, trade_date, limit_down, limit_up) holds what was read there. A day of which an event has
+    no limits has none.
+    """
+    on = [events.stock_id == limits.stock_id, events.ex_date == limits.trade_date, fetches.sha256 == limits.sha256]
+    found = events.join(fetches, "fetch_id", "left").join(limits, on, "left").select(
+        *[events[c] for c in SERIES], events.ex_date, "limit_down", "limit_up"
+    )
+    days = found.groupBy(*SERIES, "ex_date").agg(
+        F.max("limit_down").alias("lowest"),
+        F.min("limit_up").alias("highest"),
+        F.bool_and(F.col("limit_down").isNotNull() & F.col("limit_up").isNotNull()).alias("__all"),
+    )
+    return days.where("__all").drop("__all")
+
+
 def classify_gaps(
     bars: DataFrame,
     events: DataFrame,
-    calendar: DataFrame,
+    sessions: Sessions,
     spans: DataFrame,
+    markets: Mapping[str, str],
     start: Column,
-    column: str = "close",
+    allowed: DataFrame,
     free_sessions: int = 5,
 ) -> DataFrame:
-    """Moves beyond the daily limits and why (J15): (series, previous_date, trade_date, sessions, ratio, reason,
-    detail).
+    """Moves beyond the daily limits and why (J15): (kind, series, previous_date, trade_date, sessions, previous_close,
+    close, ratio, reason, detail).
+
+    ``bars`` have close and adjusted_close; kinds are ``raw`` and ``adjusted``, each from one traded day to the next. A move
+    of which a price is missing (or the first is zero) has the reason ``unknown``. Details: ``new_listing`` (one of the
+    first sessions since a listing in the source's market), ``series_start`` (one since the series' first bar, if that is
+    after ``start`` and no listing is as late), ``within_published_limits`` (adjusted moves at an event whose day's
+    ``allowed`` closes, see ``event_limits``, hold the raw close), ``corporate_action`` (an event after the day before and
+    up to the day). ``spans`` have stock_id, market and listed_on, ``markets`` the market of a source.
 
-    Traded closes only. Events between the two days (exclusive, inclusive) are found by carrying the last event date
-    forward in the series' window; listings likewise, so no range join is needed. ``events`` has the series and
-    ex_date; ``spans`` stock_id and listed_on.
+    Events and listings are found by carrying the last one forward in the series' window; no range join.
     """
-    s = session_index(calendar)
-    w = Window.partitionBy(*SERIES).orderBy("trade_date")
     none = F.lit(None)
-    rows = bars.where(F.col(column).isNotNull()).select(
-        *SERIES,
-        "trade_date",
-        F.col(column).cast("double").alias("c"),
-        F.lit(2).alias("k"),
-        none.cast("date").alias("e"),
-        none.cast("date").alias("l"),
-    )
-    ev = events.select(
-        *SERIES,
-        F.col("ex_date").alias("trade_date"),
-        none.cast("double").alias("c"),
-        F.lit(0).alias("k"),
-        F.col("ex_date").alias("e"),
-        none.cast("date").alias("l"),
-    )
-    ls = bars.select(*SERIES).distinct().join(
-        spans.where("listed_on is not null").select("stock_id", "listed_on"), "stock_id"
-    ).select(
-        *SERIES,
-        F.col("listed_on").alias("trade_date"),
-        none.cast("double").alias("c"),
-        F.lit(1).alias("k"),
-        none.cast("date").alias("e"),
-        F.col("listed_on").alias("l"),
-    )
+    values = [F.col("close").cast("double").alias("c"), F.col("adjusted_close").cast("double").alias("a")]
+    no_values = [none.cast("double").alias("c"), none.cast("double").alias("a")]
+    dates = lambda e, l: [e.cast("date").alias("e"), l.cast("date").alias("l")]
+    rows = bars.select(*SERIES, "trade_date", *values, F.lit(2).alias("k"), *dates(none, none))
+    day = F.col("ex_date")
+    ev = events.select(*SERIES, day.alias("trade_date"), *no_values, F.lit(0).alias("k"), *dates(day, none))
+    market = F.create_map(*[F.lit(x) for pair in markets.items() for x in pair])[F.col("source")]
+    listed = F.col("listed_on")
+    ls = bars.select(*SERIES).distinct().withColumn("market", market).join(
+        spans.where("listed_on is not null").select("stock_id", "market", "listed_on"), ["stock_id", "market"]
+    ).select(*SERIES, listed.alias("trade_date"), *no_values, F.lit(1).alias("k"), *dates(none, listed))
     o = Window.partitionBy(*SERIES).orderBy("trade_date", "k").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     placed = rows.unionByName(ev).unionByName(ls).select(
-        *SERIES, "trade_date", "c", "k", F.max("e").over(o).alias("event"), F.max("l").over(o).alias("listed")
-    ).where("k = 2")
-    pairs = placed.withColumn("previous_date", F.lag("trade_date").over(w)).withColumn(
-        "p", F.lag("c").over(w)
-    ).withColumn(
-        "first", F.min("trade_date").over(Window.partitionBy(*SERIES))
+        *SERIES, "trade_date", "c", "a", "k",
+        F.max("e").over(o).alias("event"),
+        F.max("l").over(o).alias("listed"),
+        F.min(F.when(F.col("k") == 2, F.col("trade_date"))).over(o).alias("first"),
+    ).where("k = 2 and c is not null")
+    w = Window.partitionBy(*SERIES).orderBy("trade_date")
+    pairs = placed.select(
+        "*", *[F.lag(c).over(w).alias(f"p_{c}") for c in ("trade_date", "c", "a")]
+    ).where("p_trade_date is not null")
+    moves = F.array(
+        F.struct(F.lit("raw").alias("kind"), F.col("p_c").alias("previous_close"), F.col("c").alias("close")),
+        F.struct(F.lit("adjusted").alias("kind"), F.col("p_a").alias("previous_close"), F.col("a").alias("close")),
     )
-    n = pairs.where("previous_date is not null and p <> 0")
-    for name in ("trade_date", "previous_date", "listed", "first"):
-        n = n.join(small(s.select(F.col("trade_date").alias(name), F.col("session").alias(f"s_{name}"))), name, "left")
-    n = n.withColumn("sessions", F.col("s_trade_date") - F.col("s_previous_date")).withColumn(
-        "ratio", F.col("c") / F.col("p")
-    ).where(
-        beyond_limit(F.col("ratio"), F.col("sessions"))
+    kinds = pairs.withColumn("sessions", sessions.between(F.col("p_trade_date"), F.col("trade_date"))).select(
+        "*", F.explode(moves).alias("m")
+    ).select("*", "m.*").withColumn(
+        "ratio", F.when(F.col("previous_close") != 0, F.col("close") / F.col("previous_close"))
     )
-    since = lambda c: F.col("s_trade_date") - F.col(c) + 1 <= free_sessions
-    event = F.coalesce(F.col("event") > F.col("previous_date"), F.lit(False))
-    detail = F.when(F.coalesce(since("s_listed"), F.lit(False)), "new_listing").when(
-        (F.col("first") > start) & since("s_first") & ~F.coalesce(F.col("listed") >= F.col("first"), F.lit(False)),
+    beyond = kinds.where(F.col("ratio").isNull() | beyond_limit(F.col("ratio"), F.col("sessions")))
+    soon = lambda since: sessions.nth(F.col(since), F.col("trade_date")) <= free_sessions
+    listing = F.when(F.coalesce(soon("listed"), F.lit(False)), "new_listing").when(
+        (F.col("first") > start) & soon("first") & ~F.coalesce(F.col("listed") >= F.col("first"), F.lit(False)),
         "series_start",
     )
+    g = beyond.select(
+        "kind", *SERIES, F.col("p_trade_date").alias("previous_date"), "trade_date", "sessions", "previous_close", "close",
+        "ratio", "c", listing.alias("listing"),
+        F.coalesce(F.col("event") > F.col("p_trade_date"), F.lit(False)).alias("has_event"),
+    )
+    g = g.join(allowed.withColumnRenamed("ex_date", "trade_date"), [*SERIES, "trade_date"], "left")
+    held = (F.col("kind") == "adjusted") & F.col("has_event") & F.coalesce(
+        F.col("c").between(F.col("lowest"), F.col("highest")), F.lit(False)
+    )
+    detail = F.coalesce("listing", F.when(held, "within_published_limits"))
     # The reasons of gaps, in the order they are tried.
-    reason = F.when(
+    reason = F.when(F.col("ratio").isNull(), "unknown").when(
         detail.isNotNull(), "explained_by_other_documented_market_event"
-    ).when(event, "explained_by_corporate_action").otherwise("unexplained_anomaly")
-    return n.select(
-        *SERIES,
-        "previous_date",
-        "trade_date",
-        "sessions",
-        "ratio",
-        reason.alias("reason"),
-        F.coalesce(detail, F.when(event, "corporate_action")).alias("detail"),
+    ).when(F.col("has_event"), "explained_by_corporate_action").otherwise("unexplained_anomaly")
+    shown = F.when(F.col("ratio").isNotNull(), F.coalesce(detail, F.when(F.col("has_event"), "corporate_action")))
+    return g.select(
+        "kind", *SERIES, "previous_date", "trade_date", "sessions", "previous_close", "close", "ratio",
+        reason.alias("reason"), shown.alias("detail"),
     )
 
 

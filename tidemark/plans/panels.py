@@ -76,17 +76,30 @@ def actions(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when((F.col("o_custkey") % 100 + 1) % 2 == 0, "alpha").otherwise("beta").alias("source"),
         F.col("o_orderdate").cast("date").alias("ex_date"),
         F.expr("o_orderdate + make_dt_interval(0, o_orderkey % 48, 0, o_orderkey % 3600)").alias("recorded_at"),
-        F.when(F.col("o_orderkey") % 997 != 0, 1 - (F.col("o_orderkey") % 5) / 1000.0).alias("event_factor"),
+        F.when(F.col("o_orderkey") % 997 != 0, 1 - (F.col("o_orderkey") % 5) / 99991.0).alias("event_factor"),
         (F.col("o_orderkey") % 31 == 0).alias("retracted"),
         F.floor("o_totalprice").cast("bigint").alias("close_before"),
         "o_orderkey",
-        "o_orderpriority",
+        F.concat(
+            F.lit("f"), F.col("o_orderdate").cast("date").cast("string"), (F.col("o_orderkey") % 2).cast("string")
+        ).alias("fetch_id"),
     )
 
 
-def events_by_stock(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The events that change prices: urgent orders."""
-    return actions(spark, sf_dir).where("o_orderpriority = '1-URGENT'")
+def limit_payloads(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """The result feeds that events were fetched from: (fetch_id, sha256) and the store's (sha256, content). A feed is
+    the list of one day's events with odd or even numbers, with limits for most stocks."""
+    e = actions(spark, sf_dir).groupBy("fetch_id", "ex_date", "stock_id").agg(F.min("o_orderkey").alias("m"))
+    low = 900 + F.col("m") % 300
+    price = lambda p: F.when(F.col("m") % 11 == 0, "-").otherwise(F.format_number(p, 2))
+    day = F.concat((F.year("ex_date") - 1911).cast("string"), F.date_format("ex_date", "'年'MM'月'dd'日'"))
+    line = F.array(day, F.col("stock_id"), price(low + 100 + F.col("m") % 700), price(low))
+    lists = e.groupBy("fetch_id").agg(F.sort_array(F.collect_list(line)).alias("data"))
+    head = F.array(*[F.lit(h) for h in ("資料日期", "股票代號", "漲停價格", "跌停價格")])
+    stored = lists.select(
+        "fetch_id", F.to_json(F.struct(F.lit("OK").alias("stat"), head.alias("fields"), "data")).alias("content")
+    ).withColumn("sha256", F.sha2("content", 256))
+    return stored.select("fetch_id", "sha256"), stored.select("sha256", "content").distinct()
 
 
 def reports(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -189,8 +202,8 @@ CTE = {
     "actions": """actions as (select (o_custkey % 100 + 1)::varchar as stock_id, case when (o_custkey % 100 + 1) % 2 =
     0 then 'alpha' else 'beta' end as source, o_orderdate::date as ex_date,
         o_orderdate + to_hours(o_orderkey % 48) + to_seconds(o_orderkey % 3600) as recorded_at, case when o_orderkey %
-        997 <> 0 then 1 - (o_orderkey % 5) / 1000.0::double end as event_factor,
-        o_orderkey % 31 = 0 as retracted, floor(o_totalprice)::bigint as close_before, o_orderkey, o_orderpriority
+        997 <> 0 then 1 - (o_orderkey % 5) / 99991.0::double end as event_factor,
+        o_orderkey % 31 = 0 as retracted, floor(o_totalprice)::bigint as close_before, o_orderkey, o_orderkey % 2 as feed
         from orders)""",
     "reports": """report_base as (select (o_custkey % 100 + 1) as s, year(o_orderdate) as report_year,
     quarter(o_orderdate) as report_quarter, sum(floor(o_totalprice)::bigint)::bigint as total, count(*) as n from

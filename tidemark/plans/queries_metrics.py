@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.rounding import round_15_digits, round_half_even_scaled, round_half_up
 from tidemark.operators import incremental, metrics, valuation
-from tidemark.plans.panels import bars, events_by_stock, facts, flows, reports, table, versions, with_
+from tidemark.plans.panels import bars, actions, facts, flows, reports, table, versions, with_
 from tidemark.plans.registry import query
 from tidemark.sources.payloads import long_to_wide_levels
 
@@ -285,7 +285,7 @@ def _(spark, d):
     )
 
 
-_EVENTS = f"""{with_('bars', 'actions')}, ev as (select * from actions where o_orderpriority = '1-URGENT'), last as
+_EVENTS = f"""{with_('bars', 'actions')}, ev as (select * from actions), last as
     (select stock_id, source, max(trade_date) as z from bars group by 1, 2)"""
 _FACTOR = f"""{_EVENTS}, f as (select b.stock_id, b.source, b.trade_date, any_value(b.close) as close, case when
     count(*) filter (e.ex_date is not null and e.event_factor is null) = 0 then coalesce(product(e.event_factor), 1)
@@ -302,7 +302,7 @@ _FACTOR = f"""{_EVENTS}, f as (select b.stock_id, b.source, b.trade_date, any_va
 )
 def _(spark, d):
     sources = spark.createDataFrame([("alpha", "alpha"), ("beta", "beta")], "source string, price_source string")
-    out = metrics.adjusted_prices(bars(spark, d), events_by_stock(spark, d), sources)
+    out = metrics.adjusted_prices(bars(spark, d), actions(spark, d), sources)
     return out.select(*KEY, F.round("factor", 6).alias("factor"), F.round("adjusted_close", 6).alias("adjusted_close"))
 
 
@@ -314,7 +314,7 @@ def _(spark, d):
 )
 def _(spark, d):
     return metrics.applied_events(
-        bars(spark, d), events_by_stock(spark, d), F.lit("1997-01-01").cast("date")
+        bars(spark, d), actions(spark, d), F.lit("1997-01-01").cast("date")
     ).select(*SERIES, "ex_date", "o_orderkey")
 
 

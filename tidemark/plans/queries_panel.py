@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidemark.operators import metrics, panel, pit, reconcile, spans
-from tidemark.plans.panels import bars, events_by_stock, facts, flows, reports, table, versions, with_
+from tidemark.plans.panels import actions, bars, facts, flows, limit_payloads, reports, table, versions, with_
 from tidemark.plans.queries_metrics import _LEVELS, _Q, levels
 from tidemark.plans.registry import query
+from tidemark.sources import payloads
 from tidemark.sources.payloads import long_to_wide_levels
 
 SERIES = ["stock_id", "source"]
@@ -1003,55 +1004,73 @@ def _(spark, d):
     ).groupBy("diff_class").agg(F.count("*").alias("n"))
 
 
-_GAPS = f"""{with_('bars', 'actions')}, cal as (select trade_date, row_number() over (order by trade_date) as s from
-    (select distinct trade_date from bars)), ev as (select distinct stock_id, source, ex_date from actions where
-    o_orderpriority = '1-URGENT'), sp as (select distinct stock_id, date '1996-01-02' as listed_on from bars where
-    stock_id::int % 3 = 0 and exists (select 1 from cal where trade_date = date '1996-01-02')),
-    p as (select *, lag(trade_date) over w as pd, lag(close) over w as pc, min(trade_date) over (partition by
-    stock_id, source) as f from bars window w as (partition by stock_id, source order by trade_date)),
-    g as (select p.*, c.s - c2.s as k, close / pc as r, c.s - cf.s + 1 as since_first, case when listed_on <=
-    p.trade_date then c.s - cl.s + 1 end as since_listed, case when listed_on <= p.trade_date then listed_on end as
-    lo, exists (select 1 from ev where ev.stock_id = p.stock_id and ev.source = p.source and ex_date > pd and ex_date
-    <= p.trade_date) as e
-        from p join cal c on c.trade_date = p.trade_date join cal c2 on c2.trade_date = pd join cal cf on
-        cf.trade_date = f left join sp on sp.stock_id = p.stock_id left join cal cl on cl.trade_date = listed_on where
-        pc <> 0),
-    h as (select *, case when coalesce(since_listed <= 5, false) then 'new_listing' when f > date '1995-01-03' and
-    since_first <= 5 and not coalesce(lo >= f, false) then 'series_start' end as dt from g where r > pow(1.1::double,
-    k) + 1e-9 or r < pow(0.9::double, k) - 1e-9)"""
+_GAPS = f"""{with_('bars', 'actions')},
+    cal as (select distinct trade_date as d from bars where isodow(trade_date) <> 7),
+    sp as (select distinct stock_id, case when stock_id::int % 12 = 0 or stock_id::int % 2 = 1 then 'otc' else 'sii' end as market,
+        date '1996-01-07' as listed_on from bars where stock_id::int % 3 = 0),
+    days as (select distinct trade_date as d from bars union select date '1996-01-07'),
+    ranks as (select d, (select count(*) from cal where cal.d <= days.d) as upto, (select count(*) from cal where cal.d < days.d) as before from days),
+    ends as (select stock_id, source, max(trade_date) as z, min(trade_date) as first from bars group by 1, 2),
+    b as (select *, case when volume % 23 <> 0 then close end as c from bars),
+    f as (select b.stock_id, b.source, b.trade_date, any_value(b.c) as c, case when count(*) filter (e.ex_date is not null and
+        e.event_factor is null) = 0 then coalesce(product(e.event_factor), 1) end as factor from b join ends using (stock_id, source)
+        left join actions e on e.stock_id = b.stock_id and e.source = b.source and e.ex_date > b.trade_date and e.ex_date <= z group by 1, 2, 3),
+    t as (select f.*, c * factor as a, lag(trade_date) over w as pd, lag(c) over w as pc, lag(c * factor) over w as pa from f
+        where c is not null window w as (partition by stock_id, source order by trade_date)),
+    lim0 as (select stock_id, ex_date, feed, min(o_orderkey) as m from actions group by 1, 2, 3),
+    lim as (select stock_id, ex_date, bool_and(m % 11 <> 0) as known, max(900 + m % 300) as lowest, min(1000 + m % 300 + m % 700) as highest
+        from lim0 group by 1, 2),
+    g as (select t.*, first, case when sp.listed_on <= t.trade_date then listed_on end as listed,
+        exists (select 1 from actions e where e.stock_id = t.stock_id and e.source = t.source and ex_date > pd and ex_date <= t.trade_date) as e,
+        r.upto - p.upto as k, r.upto - l.before as nth_listed, r.upto - x.before as nth_first,
+        coalesce(known and c between lowest and highest, false) as held
+        from t join ends using (stock_id, source) join ranks r on r.d = t.trade_date join ranks p on p.d = pd join ranks x on x.d = first
+        left join sp on sp.stock_id = t.stock_id and sp.market = case t.source when 'alpha' then 'sii' else 'otc' end
+        left join ranks l on l.d = listed_on and listed_on <= t.trade_date
+        left join lim on lim.stock_id = t.stock_id and lim.ex_date = t.trade_date
+            and exists (select 1 from actions e where e.stock_id = t.stock_id and e.source = t.source and e.ex_date = t.trade_date)),
+    kinds as (select 'raw' as kind, c / nullif(pc, 0) as ratio, g.* from g union all select 'adjusted', a / nullif(pa, 0), g.* from g),
+    h as (select *, case when coalesce(nth_listed <= 5, false) then 'new_listing'
+            when first > date '1995-01-03' and nth_first <= 5 and not coalesce(listed >= first, false) then 'series_start'
+            when kind = 'adjusted' and e and held then 'within_published_limits' end as dt
+        from kinds where ratio is null or ratio > pow(1.1::double, k) + 1e-9 or ratio < pow(0.9::double, k) - 1e-9)"""
 
 
 @query(
     "reconcile_gap_classes",
-    f"""{_GAPS} select case when dt is not null then 'explained_by_other_documented_market_event' when e then
-    'explained_by_corporate_action' else 'unexplained_anomaly' end as reason, coalesce(dt, case when e then
-    'corporate_action' end) as detail, count(*) as n, sum(k)::bigint as sessions from h group by 1, 2""",
+    f"""{_GAPS} select kind, case when ratio is null then 'unknown' when dt is not null then
+        'explained_by_other_documented_market_event' when e then 'explained_by_corporate_action' else 'unexplained_anomaly' end as reason,
+        case when ratio is not null then coalesce(dt, case when e then 'corporate_action' end) end as detail, count(*) as n,
+        sum(k)::bigint as sessions from h group by 1, 2, 3""",
 )
 def _(spark, d):
-    b = bars(spark, d)
-    sp = b.where("cast(stock_id as int) % 3 = 0").select("stock_id").distinct().withColumn(
-        "listed_on", day("1996-01-02")
-    )
-    cal = b.select("trade_date").distinct()
-    sp = sp.join(
-        cal.where("trade_date = date'1996-01-02'").select(F.col("trade_date").alias("listed_on")),
-        "listed_on",
-        "left_semi",
+    b = bars(spark, d).withColumn("close", F.when(F.col("volume") % 23 != 0, F.col("close")))
+    events, u = actions(spark, d), F.col("stock_id").cast("int")
+    sources = spark.createDataFrame([("alpha", "alpha"), ("beta", "beta")], "source string, price_source string")
+    prices = metrics.adjusted_prices(b, events, sources)
+    sp = b.where(u % 3 == 0).select("stock_id").distinct().select(
+        "stock_id",
+        F.when((u % 12 == 0) | (u % 2 == 1), "otc").otherwise("sii").alias("market"),
+        day("1996-01-07").alias("listed_on"),
     )
-    x = reconcile.classify_gaps(b, events_by_stock(spark, d), cal, sp, day("1995-01-03"))
-    return x.groupBy("reason", "detail").agg(F.count("*").alias("n"), F.sum("sessions").alias("sessions"))
+    fetches, store = limit_payloads(spark, d)
+    allowed = reconcile.event_limits(events, fetches, payloads.published_limits(store))
+    sessions = reconcile.Sessions(b.where("dayofweek(trade_date) <> 1"))
+    markets = {"alpha": "sii", "beta": "otc"}
+    x = reconcile.classify_gaps(prices, events, sessions, sp, markets, day("1995-01-03"), allowed)
+    return x.groupBy("kind", "reason", "detail").agg(F.count("*").alias("n"), F.sum("sessions").alias("sessions"))
 
 
 @query(
     "reconcile_event_continuity",
     days="ex_date",
-    sql=f"""{with_('bars', 'actions')}, ev as (select * from actions where o_orderpriority = '1-URGENT') select
+    sql=f"""{with_('bars', 'actions')}, ev as (select * from actions) select
     e.stock_id, e.source, e.ex_date, e.close_before::double as close_before, b.close as previous_close,
     coalesce(e.close_before::double = b.close, false) as continuous from ev e asof left join bars b on b.stock_id =
     e.stock_id and b.source = e.source and e.ex_date > b.trade_date""",
 )
 def _(spark, d):
-    return reconcile.event_continuity(events_by_stock(spark, d), bars(spark, d))
+    return reconcile.event_continuity(actions(spark, d), bars(spark, d))
 
 
 @query(

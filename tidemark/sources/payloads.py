@@ -287,3 +287,27 @@ def trading_days(raw: DataFrame, asked_month: str, body: str = "body") -> DataFr
         asked_month, F.lit(None).cast("date").alias("trade_date"), F.lit("empty_month").alias("violation")
     )
     return days.withColumn("violation", reason).unionByName(none)
+
+
+#: How the columns of the daily limits are headed.
+LIMIT_UP, LIMIT_DOWN = "漲停價", "跌停價"
+
+
+def published_limits(payloads: DataFrame, body: str = "content") -> DataFrame:
+    """(payload's other columns, stock_id, trade_date, limit_down, limit_up) of result-feed lists.
+
+    Lists have the date first, the code second and the limits in the columns so headed; payloads without these columns have
+    none. Rows whose date or limits aren't readable are left out; of rows with equal code and date the last counts.
+    """
+    keep = [c for c in payloads.columns if c != body]
+    tables = payload_tables(payloads, body).where("table_no = 0")
+    at = lambda head: F.array_position(F.transform("fields", lambda f: F.startswith(f, F.lit(head))), True)
+    rows = tables.select(*keep, at(LIMIT_DOWN).alias("__d"), at(LIMIT_UP).alias("__u"), F.posexplode("data").alias("__n", "r"))
+    cell = lambda i: F.try_element_at("r", i.cast("int"))
+    price = lambda i: F.regexp_replace(cell(i), ",", "").try_cast("decimal(20,6)")
+    read = rows.where("__d > 0 and __u > 0").select(
+        *keep, "__n", F.trim(cell(F.lit(2))).alias("stock_id"), roc_date(cell(F.lit(1))).alias("trade_date"),
+        price(F.col("__d")).alias("limit_down"), price(F.col("__u")).alias("limit_up"),
+    ).where("trade_date is not null and limit_down is not null and limit_up is not null")
+    last = read.groupBy(*keep, "stock_id", "trade_date").agg(F.max_by(F.struct("limit_down", "limit_up"), "__n").alias("x"))
+    return last.select(*keep, "stock_id", "trade_date", "x.*")
