@@ -1,6 +1,7 @@
 """Hand-made scenarios whose answers are known, and plain restatements of the recurrences."""
 
 import datetime as dt
+import hashlib
 import json
 import math
 import random
@@ -355,12 +356,22 @@ def test_table_sinks(spark, tmp_path):
     with pytest.raises(ValueError):
         tables.read_table(spark, str(tmp_path), "industry_observations", "2024-02-01", "2024-01-01")
     assert all(set(d.keys) <= set(d.schema.names) for d in OBSERVED.values())
-    part = rows.withColumn("day", F.col("trade_date").cast("string"))
-    tables.overwrite_series(part, f"{tmp_path}/p", "day")
-    tables.overwrite_series(
-        part.where("stock_id = '1'").withColumn("industry_code", F.lit("09")), f"{tmp_path}/p", "day"
-    )
-    assert {r.industry_code for r in spark.read.parquet(f"{tmp_path}/p").collect()} == {"09", "02"}
+    path = f"{tmp_path}/derived"
+    many = spark.createDataFrame(
+        [(str(k), "a", D(2024, 1, d), k * d) for k in range(40) for d in (1, 2)], "stock_id string, source string, trade_date date, v int"
+    )
+    tables.overwrite_series(many, path, "trade_date", 8)
+    files = {f: f.stat().st_mtime_ns for f in (tmp_path / "derived").rglob("*.parquet")}
+    assert len(files) == 8
+    fresh = tables.read_series(spark, path).where("stock_id = '7'").withColumn("v", F.lit(-1))
+    tables.overwrite_series(fresh.where("trade_date = '2024-01-02'"), path, "trade_date", 8)
+    back = {(r.stock_id, r.trade_date.day): r.v for r in tables.read_series(spark, path).collect()}
+    want = {(str(k), d): k * d for k in range(40) for d in (1, 2) if k != 7} | {("7", 2): -1}
+    assert back == want
+    after = set((tmp_path / "derived").rglob("*.parquet"))
+    assert len(after) == 8 and len(after & set(files)) == 7
+    tables.overwrite_series(many.limit(0), path, "trade_date", 8)
+    assert tables.read_series(spark, path).count() == len(want)
 
 
 def test_refusals(spark):
@@ -488,6 +499,25 @@ def test_append_stream(spark, tmp_path):
     assert [r.v for r in got.orderBy("recorded_at").collect()] == [1, 2, 1]
 
 
+@pytest.mark.parametrize("cuts", [(6,), (1, 1, 1, 1, 1, 1), (2, 1, 3)])
+def test_append_stream_is_the_same_however_it_is_cut(spark, tmp_path, cuts):
+    from tidemark.streaming.append import append_changed_stream
+
+    schema = "k string, recorded_at timestamp_ntz, v int"
+    rows = [("k", T(2024, 1, d), v) for d, v in enumerate((1, 2, 1, 1, None, None), 1)]
+    src, out, at = f"{tmp_path}/in", f"{tmp_path}/out", 0
+    for n in cuts:
+        batch = [*rows[at : at + n], ("z", T(2024, 1, at + 1), 3)]
+        spark.createDataFrame(batch, schema).coalesce(1).write.mode("append").parquet(src)
+        stream = spark.readStream.schema(schema).parquet(src)
+        append_changed_stream(stream, out, f"{tmp_path}/chk", ["k"], ["v"]).awaitTermination()
+        at += n
+    got = spark.read.schema(schema).option("recursiveFileLookup", "true").parquet(out).orderBy("k", "recorded_at")
+    assert [(r.k, r.recorded_at.day, r.v) for r in got.collect()] == [
+        ("k", 1, 1), ("k", 2, 2), ("k", 3, 1), ("k", 5, None), ("z", 1, 3)
+    ]
+
+
 def test_append_stream_replays_a_batch(spark, tmp_path):
     """A batch whose commit is lost is run again: nothing is lost or repeated. A new checkpoint can't overwrite
     batches."""
@@ -585,7 +615,7 @@ def test_rolling_panel_equals_recomputing_every_segment(spark):
                     "1",
                     "a",
                     day,
-                    at + dt.timedelta(hours=extra),
+                    at + dt.timedelta(hours=extra, microseconds=extra % 3 * 1500),
                     close,
                     None if close is None or r.random() < 0.05 else close + 1,
                     None if close is None else close - 1,
@@ -600,6 +630,15 @@ def test_rolling_panel_equals_recomputing_every_segment(spark):
     ).orderBy("trade_date").collect()
     got = rolling.rolling_panel(a, instants.exchange_daily_settled).orderBy("trade_date").collect()
     assert len(got) == len(want) == 60
+    held = a.withColumn("cutoff", instants.exchange_daily_settled(F.col("trade_date"))).collect()
+    cutoffs = {x.trade_date: x.cutoff for x in held}
+    for g in got:
+        seen = {}
+        for x in sorted(held, key=lambda x: x.recorded_at):
+            if x.trade_date <= g.trade_date and x.available_at <= cutoffs[g.trade_date]:
+                seen[x.trade_date] = f"{x.trade_date}@{x.recorded_at.isoformat()}+00:00"
+        text = ",".join(v for _, v in sorted(seen.items()))
+        assert (g.input_count, g.input_fingerprint) == (len(seen), hashlib.sha256(text.encode()).hexdigest())
     for g, w in zip(got, want):
         for m in metrics.METRICS:
             x, y = (None if v is None or math.isnan(v) else v for v in (g[m], w[m]))

@@ -33,6 +33,28 @@ def append_changed(incoming: DataFrame, stored: DataFrame, keys: Sequence[str],
     return with_latest(incoming, stored, keys, values).where("is_changed").drop("__old", "is_new", "is_changed")
 
 
+def append_versions(incoming: DataFrame, stored: DataFrame, keys: Sequence[str], values: Sequence[str]) -> DataFrame:
+    """Incoming versions whose values differ from the version before them (D2): that of their key in ``incoming`` by
+    recorded_at, for its first one the key's stored latest; a key without one is new.
+
+    A key may have any number of versions in ``incoming``; 1, 2, 1 appends three. What is appended doesn't depend on how
+    versions are cut into batches, as long as those of a key come in the order of recorded_at. Versions of one instant are
+    ordered by their values. One window over the keys that come; the stored ones are reduced to these and to their latest
+    first.
+    """
+    came = incoming.select(*keys).distinct()
+    known = stored.select(*keys, "recorded_at", *values)
+    same = [known[k].eqNullSafe(came[k]) for k in keys]
+    seed = latest_per_key(known.join(came, same, "left_semi"), keys)
+    rows = incoming.withColumn("__own", F.lit(True)).unionByName(
+        seed.withColumn("__own", F.lit(False)), allowMissingColumns=True
+    )
+    w = Window.partitionBy(*keys).orderBy("__own", "recorded_at", *values)
+    before = F.lag(F.struct(*values)).over(w)
+    judged = rows.withColumn("__old", before)
+    return judged.where(F.col("__own") & (F.col("__old").isNull() | _differs(values))).drop("__own", "__old")
+
+
 def stamp_published(changed: DataFrame, purpose: str, published: str = "published_at") -> DataFrame:
     """``published_at`` stays on a key's first row and only for a first capture (D3); needs ``is_new``."""
     keep = F.col("is_new") & F.lit(purpose == "first_capture")

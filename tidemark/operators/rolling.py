@@ -4,11 +4,16 @@ A correction of an earlier date becomes public between two release instants; the
 the corrected date on, and from there only. So each series is scanned once, in order of its dates: the values visible
 so far are held in arrays beside the state of every recurrence, what became public since the last date is written into
 them, and the states are brought up to date from the earliest date written. A date costs as many steps as the
-corrections that it sees reach back.
+corrections that it sees reach back. One of the states is the digest of what was read, so every row says what its own
+instant saw.
+
+Closes are summed as whole millionths, so a sum is the same however often it is resumed; prices of more than six
+decimal places would be rounded to six in the moving averages.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable, Sequence
 
 import numpy as np
@@ -61,18 +66,26 @@ class Scan:
         #: Running sums, as whole numbers, and counts of the values that are there.
         self.sums, self.counts = {c: [0] * (n + 1) for c in UNITS}, {c: [0] * (n + 1) for c in UNITS}
         self.last: dict[str, float] = {}
+        #: The digest of the items of the visible places up to each place, and their number.
+        self.items: list[bytes] = [b""] * n
+        self.digests, self.inputs = [hashlib.sha256()] * (n + 1), [0] * (n + 1)
 
-    def put(self, i: int, recorded: int, values: Sequence[float]) -> bool:
+    def put(self, i: int, recorded: int, values: Sequence[float], item: bytes) -> bool:
         """Write a version of place ``i`` unless a later one is there."""
         if recorded < self.recorded[i]:
             return False
-        self.recorded[i] = recorded
+        self.recorded[i], self.items[i] = recorded, item
         self.high[i], self.low[i], self.close[i], self.volume[i] = values
         return True
 
     def step(self, i: int) -> None:
         """Bring the states of place ``i`` up to date, those before it being so."""
         close = self.close[i]
+        self.digests[i + 1], self.inputs[i + 1] = self.digests[i], self.inputs[i]
+        if self.items[i]:
+            digest = self.digests[i + 1] = self.digests[i].copy()
+            digest.update(b"," + self.items[i] if self.inputs[i] else self.items[i])
+            self.inputs[i + 1] += 1
         for c, value in (("close", close), ("volume", self.volume[i])):
             known = value == value
             self.sums[c][i + 1] = self.sums[c][i] + (round(value * UNITS[c]) if known else 0)
@@ -119,29 +132,41 @@ def scan_series(
     available: np.ndarray,
     recorded: np.ndarray,
     values: np.ndarray,
-) -> np.ndarray:
-    """The panel rows of a series: ``dates`` with their ``cutoffs``, and versions with their date's place, instants
-    and values."""
+    items: Sequence[bytes],
+) -> tuple[np.ndarray, list[int], list[str]]:
+    """The panel rows of a series, with the number and the digest of what each has read: ``dates`` with their ``cutoffs``,
+    and versions with their date's place, instants, values and item of the digest."""
     order = np.lexsort((recorded, available)).tolist()
     cutoffs, place, available, recorded, values = (x.tolist() for x in (cutoffs, place, available, recorded, values))
     scan, out, at = Scan(len(dates)), np.empty((len(dates), len(METRICS))), 0
+    counts, prints = [], []
     for i, cutoff in enumerate(cutoffs):
         start = i
         while at < len(order) and available[order[at]] <= cutoff:
             v = order[at]
-            if scan.put(place[v], recorded[v], values[v]):
+            if scan.put(place[v], recorded[v], values[v], items[v]):
                 start = min(start, place[v])
             at += 1
         for j in range(start, i + 1):
             scan.step(j)
         out[i] = scan.row(i)
-    return out
+        counts.append(scan.inputs[i + 1])
+        prints.append(scan.digests[i + 1].hexdigest())
+    return out, counts, prints
+
+
+def input_items(days: np.ndarray, recorded: np.ndarray) -> list[bytes]:
+    """``date@recorded`` of versions, instants in UTC to the microsecond, without a fraction where there is none."""
+    dates = np.datetime_as_string(days.astype("datetime64[D]"))
+    instants = np.datetime_as_string(recorded.astype("datetime64[us]"))
+    return [f"{d}@{r.removesuffix('.000000')}+00:00".encode() for d, r in zip(dates.tolist(), instants.tolist())]
 
 
 def rolling_panel(
     available: DataFrame, rule: Callable[[Column], Column], series: Sequence[str] = SERIES, date: str = "trade_date"
 ) -> DataFrame:
-    """The 22 metrics of every date from the versions public at its own release instant ``rule(date)``.
+    """The 22 metrics of every date from the versions public at its own release instant ``rule(date)``, with ``input_count``
+    and ``input_fingerprint`` of the versions it read (E18: SHA-256 over their ``date@recorded``, comma-joined).
 
     ``available`` has the series, the date, recorded_at, available_at, high, low, close and volume. One task scans
     a series; only what it needs is shuffled.
@@ -153,15 +178,19 @@ def rolling_panel(
         *series, date, micros("recorded_at").alias("__r"), micros("available_at").alias("__a"), own, *bars
     )
     schema = T.StructType(
-        [rows.schema[c] for c in (*series, date)] + [T.StructField(m, T.DoubleType()) for m in METRICS]
+        [rows.schema[c] for c in (*series, date)]
+        + [T.StructField(m, T.DoubleType()) for m in METRICS]
+        + [T.StructField("input_count", T.LongType()), T.StructField("input_fingerprint", T.StringType())]
     )
 
     def along(group: pd.DataFrame) -> pd.DataFrame:
         days, first, place = np.unique(group[date].to_numpy(), return_index=True, return_inverse=True)
         cutoffs = group["__cutoff"].to_numpy()[first]
         values = group[["high", "low", "close", "volume"]].to_numpy(float)
-        found = scan_series(days, cutoffs, place, group["__a"].to_numpy(), group["__r"].to_numpy(), values)
-        out = pd.DataFrame(found, columns=list(METRICS))
+        recorded = group["__r"].to_numpy()
+        items = input_items(group[date].to_numpy(), recorded)
+        found, counts, prints = scan_series(days, cutoffs, place, group["__a"].to_numpy(), recorded, values, items)
+        out = pd.DataFrame(found, columns=list(METRICS)).assign(input_count=counts, input_fingerprint=prints)
         out.insert(0, date, days)
         for k, c in enumerate(series):
             out.insert(k, c, group[c].iloc[0])

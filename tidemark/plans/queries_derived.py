@@ -13,6 +13,7 @@ from tidemark.operators import derived
 from tidemark.plans import queries_metrics as q
 from tidemark.plans.panels import bars, facts, flows, reports
 from tidemark.plans.registry import query
+from tidemark.sources import tables
 from tidemark.sources.payloads import long_to_wide_levels
 
 SERIES = ["stock_id", "source"]
@@ -127,6 +128,22 @@ def _(spark, d):
     return updated("margin_metrics", {"margin_trading": given}, {"margin_trading": tuple(KEY)}, LINES_SINCE)
 
 
+@query("incremental_stored_run", days="trade_date", sql=q.MARGIN_SQL)
+def _(spark, d):
+    """Two runs through the table: the first writes all series, the second reads, computes and rewrites what changed."""
+    given = revised(
+        q.margin(spark, d), "trade_date", {"margin_balance": F.col("margin_balance") + 1}, _late(*KEY), LINES_SINCE
+    )
+    dataset, at = DATASETS["margin_metrics"], F.lit(LINES_SINCE).cast("timestamp_ntz")
+    keys, path = {"margin_trading": tuple(KEY)}, tables.scratch_folder(spark, "margin")
+    earlier = {"margin_trading": given.where(F.col("recorded_at") <= at)}
+    tables.overwrite_series(derived.run(dataset, earlier, None, None, at, keys), path, "trade_date")
+    stored = tables.read_series(spark, path)
+    touched = derived.run(dataset, {"margin_trading": given}, stored, at, at + F.expr("interval 1 day"), keys)
+    tables.overwrite_series(touched, path, "trade_date")
+    return tables.read_series(spark, path).drop("computed_at")
+
+
 @query("incremental_short_interest", days="trade_date", sql=q.SHORT_SQL)
 def _(spark, d):
     given = revised(q.lending(spark, d), "trade_date", {"balance": F.col("balance") + 1}, _late(*KEY), LINES_SINCE)

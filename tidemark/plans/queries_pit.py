@@ -246,18 +246,18 @@ def _along(rows: str, first: str, step: str) -> str:
 #: Every date's visible closes and volumes in order, then each metric of the whole list's last place.
 _ROLLING = f"""{with_('available')}, cut as (select distinct stock_id, source, trade_date as day,
     trade_date::timestamp + interval 19 hour as cutoff from versions),
-    seen as (select c.stock_id, c.source, c.day, v.trade_date, max_by({{'c': v.close, 'v': v.volume}}, v.recorded_at)
+    seen as (select c.stock_id, c.source, c.day, v.trade_date, max(v.recorded_at) as seen_at, max_by({{'c': v.close, 'v': v.volume}}, v.recorded_at)
     as r from cut c join available v on v.stock_id = c.stock_id and v.source = c.source and v.trade_date <= c.day and
     v.available_at <= c.cutoff group by 1, 2, 3, 4),
-    w as (select stock_id, source, day, trade_date, r.c as c, r.v as v, case when count(*) over nine = 9 and max(r.c)
+    w as (select stock_id, source, day, trade_date, strftime(trade_date, '%Y-%m-%d') || '@' || strftime(seen_at, '%Y-%m-%dT%H:%M:%S') || '+00:00' as item, r.c as c, r.v as v, case when count(*) over nine = 9 and max(r.c)
     over nine + 1 > min(r.c) over nine - 1 then (r.c - (min(r.c) over nine - 1)) / (max(r.c) over nine + 1 - (min(r.c)
     over nine - 1)) * 100 else 50.0 end as rsv,
         r.c - lag(r.c) over (partition by stock_id, source, day order by trade_date) as change from seen window nine
         as (partition by stock_id, source, day order by trade_date rows between 8 preceding and current row)),
-    l as (select stock_id, source, day, list(c order by trade_date) as c, list(v order by trade_date) as v, list(rsv
+    l as (select stock_id, source, day, count(*) as input_count, sha256(string_agg(item, ',' order by trade_date)) as input_fingerprint, list(c order by trade_date) as c, list(v order by trade_date) as v, list(rsv
     order by trade_date) as rsv, list(change order by trade_date) filter (change is not null) as ch from w group by 1,
     2, 3),
-    m as (select stock_id, source, day as trade_date, c, v, len(c) as n, c[-20:] as c20,
+    m as (select stock_id, source, day as trade_date, input_count, input_fingerprint, c, v, len(c) as n, c[-20:] as c20,
         {_along("rsv", "{'k': x, 'd': x}", "{'k': a.k * 2 / 3 + x.k / 3, 'd': a.d * 2 / 3 + (a.k * 2 / 3 + x.k / 3) / 3}")}
         as kd,
         {_along("c", "{'f': x, 's': x, 'e': 0.0::double}", "{'f': a.f * 11 / 13 + x.f * 2 / 13, 's': a.s * 25 / 27 + x.s * 2 / 27, 'e': a.e * 0.8 + ((a.f * 11 / 13 + x.f * 2 / 13) - (a.s * 25 / 27 + x.s * 2 / 27)) * 0.2}")}
@@ -266,7 +266,7 @@ _ROLLING = f"""{with_('available')}, cut as (select distinct stock_id, source, t
         as r6,
         {_along("ch", "{'g': greatest(x, 0), 'l': greatest(-x, 0)}", "{'g': a.g * 11 / 12 + x.g, 'l': a.l * 11 / 12 + x.l}")}
         as r12 from l)
-    select stock_id, source, trade_date,
+    select stock_id, source, trade_date, input_count, input_fingerprint,
     {', '.join(f"round(case when n >= {k} then list_sum({c}[-{k}:])::double / {k} end, 6) as {p}ma{k}" for p, c in (('', 'c'), ('v', 'v')) for k in metrics.WINDOWS)},
     round(kd.k, 4) as k, round(kd.d, 4) as d,
     {', '.join(f"round(case when n > {k} and r{k}.g + r{k}.l > 0 then 100 * r{k}.g / (r{k}.g + r{k}.l) end, 4) as rsi{k}" for k in (6, 12))},
@@ -281,7 +281,7 @@ def _(spark, d):
     """All 22 metrics of every date as the market saw them at its own release instant."""
     rows = available(spark, d).withColumn("high", F.col("close") + 1).withColumn("low", F.col("close") - 1)
     found = rolling.rolling_panel(rows, DAILY)
-    return found.select(*KEY, *panel_columns())
+    return found.select(*KEY, *panel_columns(), "input_count", "input_fingerprint")
 
 
 @query(
@@ -392,6 +392,21 @@ def _(spark, d):
     return append.append_changed(flat(incoming), flat(stored), KEY, ["volume", "c"]).drop("c")
 
 
+@query(
+    "append_versions",
+    days="trade_date",
+    sql=f"""{with_('versions')}, x as (select *, lag({{'v': volume % 3}}) over (partition by stock_id, source, trade_date
+    order by recorded_at) as before, volume % 3 as v from versions)
+    select stock_id, source, trade_date, recorded_at, v from x where before is null or before.v <> v""",
+)
+def _(spark, d):
+    """All versions of all keys, those before 1996 stored and all others coming in one batch."""
+    v = versions(spark, d).select(*KEY, "recorded_at", (F.col("volume") % 3).alias("v"))
+    early, none = F.col("recorded_at") < F.lit("1996-01-01 00:00:00").cast("timestamp_ntz"), v.limit(0)
+    stored = append.append_versions(v.where(early), none, KEY, ["v"])
+    return stored.unionByName(append.append_versions(v.where(~early), stored, KEY, ["v"]))
+
+
 @query(
     "append_counters",
     f"""{with_('versions')}{_CHANGED}{_INCOMING}{_OLD} select source, count(*) as parsed, count(*) filter (not oos and

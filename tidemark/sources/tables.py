@@ -7,6 +7,7 @@ import tempfile
 import uuid
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -51,9 +52,50 @@ def append_rows(rows: DataFrame, root: str, name: str, recorded_at: str, fetch_i
     ).repartitionByRange(d.period).sortWithinPartitions(d.period).write.mode("append").parquet(f"{root}/{name}")
 
 
-def overwrite_series(rows: DataFrame, path: str, partition: str) -> None:
-    """Replace the partitions that ``rows`` touches, leaving the others (A14's sink)."""
-    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(path)
+SERIES = ("stock_id", "source")
+#: Files that a derived table's series are dealt to; a run rewrites those that hold a touched series.
+BUCKETS = 64
+
+
+def read_series(spark: SparkSession, path: str) -> DataFrame:
+    """A derived table that ``overwrite_series`` wrote."""
+    return spark.read.parquet(path).drop("bucket")
+
+
+def overwrite_series(rows: DataFrame, path: str, date: str, buckets: int = BUCKETS) -> None:
+    """Replace the series that ``rows`` holds in the derived table at ``path``, leaving the others (A14's sink).
+
+    Series are dealt to a fixed number of buckets by hash, a folder and file each and sorted by series and date. A run
+    reads the buckets of its series, no others, puts their other series beside its rows, and replaces these buckets
+    alone. What it has computed is written to the shared folder first, so ``rows`` may be read from the table
+    itself and a failed run leaves the table as it was until the last commit. ``buckets`` belongs to the table.
+    """
+    spark = rows.sparkSession
+    bucket = F.pmod(F.xxhash64(*[F.col(c).cast("string") for c in SERIES]), F.lit(buckets)).cast("int")
+    staged = scratch_folder(spark, "series")
+    rows.withColumn("bucket", bucket).write.parquet(staged)
+    fresh = spark.read.parquet(staged)
+    touched = [r.bucket for r in fresh.select("bucket").distinct().collect()]
+    whole = fresh
+    if _exists(spark, path):
+        held = spark.read.parquet(path).where(F.col("bucket").isin(touched))
+        own = fresh.select(*SERIES).distinct()
+        same = [held[c].eqNullSafe(own[c]) for c in SERIES]
+        whole = scratch_folder(spark, "buckets")
+        held.join(own, same, "left_anti").select(*fresh.columns).unionByName(fresh).write.parquet(whole)
+        whole = spark.read.parquet(whole)
+    dealt = whole.repartition(len(touched) or 1, "bucket").sortWithinPartitions("bucket", *SERIES, date)
+    dealt.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("bucket").parquet(path)
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    try:
+        spark.read.parquet(path)
+        return True
+    except AnalysisException as error:
+        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return False
+        raise
 
 
 def upsert_reference(

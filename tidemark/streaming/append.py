@@ -11,8 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import LongType, StructType
 
-from tidemark.operators.append import append_changed
-from tidemark.operators.pit import latest_per_key
+from tidemark.operators.append import append_versions
 
 
 def _stored(spark: SparkSession, path: str, schema: StructType) -> DataFrame | None:
@@ -28,9 +27,10 @@ def _stored(spark: SparkSession, path: str, schema: StructType) -> DataFrame | N
 def append_changed_stream(
     stream: DataFrame, table: str, checkpoint: str, keys: Sequence[str], values: Sequence[str], base: str | None = None
 ) -> StreamingQuery:
-    """Run ``append_changed`` in ``foreachBatch`` against the Parquet table at ``table`` until the source is drained.
+    """Run ``append_versions`` in ``foreachBatch`` against the Parquet table at ``table`` until the source is drained.
 
-    Rows carry ``recorded_at``. A batch's own repeats of a key are reduced to its latest. Each batch writes to its own
+    Rows carry ``recorded_at``. Versions of a key within a batch are compared one after another, so the table is the same
+    however the stream was cut, as long as a key's versions come in the order of recorded_at. Each batch writes to its own
     directory ``batch=N`` and is compared with the earlier batches and the table ``base`` alone, so a batch that is run
     again finds what it found the first time and replaces its own rows. ``table`` belongs to one checkpoint: a new
     checkpoint starts a new ``table`` and names the existing one as ``base`` (starting it on a table that already
@@ -44,7 +44,7 @@ def append_changed_stream(
         if base is not None:
             earlier.append(spark.read.schema(schema).parquet(base))
         stored = reduce(DataFrame.unionByName, earlier) if earlier else rows.limit(0)
-        changed = append_changed(latest_per_key(rows, keys), stored, keys, values)
+        changed = append_versions(rows, stored, keys, values)
         changed.write.mode("overwrite").parquet(f"{table}/batch={number}")
 
     spark = stream.sparkSession
