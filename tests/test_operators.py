@@ -849,3 +849,39 @@ def test_expectation_and_agreement_by_market(spark):
     assert rows == {
         ("otc", D(2020, 3, 1)): (0, 0, 1, 0), ("otc", D(2020, 7, 1)): (1, 0, 0, 0), ("sii", D(2021, 7, 1)): (0, 0, 0, 1), ("otc", D(2020, 5, 1)): (0, 2, 0, 0)
     }
+
+
+def test_interval_ends_are_audited_at_every_instant(spark):
+    """Views equal the periods of every probe; an end shown before its change is public is found, and only then."""
+    s = spark.createDataFrame(
+        [("1", "sii", D(2020, 1, 1), D(2024, 3, 1)), ("2", "sii", None, None)],
+        "stock_id string, market string, listed_on date, delisted_on date",
+    )
+    rows = [
+        ("1", "n", "sii", D(2023, 7, 1), D(2023, 6, 20), "01", "02", T(2023, 6, 20, 17)),
+        ("1", "n", "sii", D(2023, 7, 1), D(2023, 6, 20), "01", "03", T(2023, 6, 25)),
+        ("1", "n", "sii", D(2023, 9, 1), D(2023, 8, 20), "03", "04", T(2023, 8, 20)),
+    ]
+    v = spans.change_versions(spark.createDataFrame(
+        rows,
+        "stock_id string, source string, market string, effective_date date, announced_on date, old_industry string, new_industry string, recorded_at timestamp_ntz",
+    ))
+    anchored = s.where("stock_id = '2'").withColumns({"anchor_code": F.lit("04"), "anchor_on": F.lit(None).cast("date")})
+    cats = spark.createDataFrame(
+        [(c, "sii", None, D(2024, 1, 1) if c == "04" else None, D(2021, 1, 1) if c == "01" else None) for c in ("01", "02", "03", "04")],
+        "code string, market string, valid_from date, valid_to date, renamed_on date",
+    )
+    known, public = ts("2100-01-01"), ts("2020-12-01")
+    views = spans.category_views(s, v, anchored, cats, known, public).cache()
+    shown = ["stock_id", "industry_code", "basis", "effective_from", "effective_to", "available_at"]
+    probes = [T(2019, 1, 1), T(2020, 6, 1), T(2020, 12, 1), T(2023, 6, 21), T(2023, 6, 25), T(2023, 8, 19), T(2023, 8, 21), T(2024, 2, 29, 16)]
+    for at in probes:
+        one = spans.category_periods(s, v, anchored, cats, ts(str(at)), known, public).select(shown)
+        held = views.where((F.col("seen_from") <= ts(str(at))) & (F.col("seen_until").isNull() | (F.col("seen_until") > ts(str(at))))).select(shown)
+        assert sorted(map(str, one.collect())) == sorted(map(str, held.collect())), at
+    asked = spark.createDataFrame([(p,) for p in probes], "probe timestamp_ntz")
+    right = spans.ends_audit(views, views, cats, public, asked).collect()
+    assert all(r.late == 0 and r.ends_not_yet_public == 0 for r in right) and sum(r.visible for r in right) > 8
+    leak = views.where("seen_until is null").withColumn("seen_from", F.lit(T(2023, 6, 21)).cast("timestamp_ntz"))
+    found = {r.probe: (r.late, r.ends_not_yet_public) for r in spans.ends_audit(leak, views, cats, public, asked).collect()}
+    assert found[T(2023, 6, 21)] == (2, 1) and found[T(2023, 8, 19)] == (1, 1) and found[T(2023, 8, 21)] == (0, 0)

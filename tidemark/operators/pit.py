@@ -277,6 +277,52 @@ def report_facts(
 MAX_PROBES = 1_000
 
 
+def probe_instants(probes: DataFrame) -> list:
+    """The distinct instants of ``probes`` in order, ``MAX_PROBES`` at most."""
+    at = [r[0] for r in probes.select("probe").distinct().orderBy("probe").limit(MAX_PROBES + 1).collect()]
+    if len(at) > MAX_PROBES:
+        raise ValueError(f"more than {MAX_PROBES} probes; audit them in parts")
+    return at
+
+
+def probes_before(at: list, instant: Column) -> Column:
+    """How many of the probes ``at`` are before an instant, all of them if it is null: a binary search in halving steps."""
+    instants = F.array(*[F.lit(p) for p in at])
+    steps = F.array(*[F.lit(1 << b) for b in reversed(range(len(at).bit_length()))])
+
+    def halve(place: Column, step: Column) -> Column:
+        return F.when(F.try_element_at(instants, place + step) < instant, place + step).otherwise(place)
+
+    place = F.aggregate(steps, F.lit(0), halve)
+    return F.coalesce(F.when(instant.isNull(), len(at)).otherwise(place), F.lit(len(at)))
+
+
+def interval_counts(intervals: DataFrame, probes: DataFrame, kinds: Sequence[str]) -> DataFrame:
+    """(probe, a column for each kind): how many ``intervals`` (kind, since, until; half-open, null until: for ever) hold
+    each probe. An interval is two steps at probes; their running sums are the counts, so nothing is multiplied."""
+    at = probe_instants(probes)
+    if not at:
+        return probes.select("probe", *[F.lit(0).cast("bigint").alias(k) for k in kinds])
+    placed = intervals.select(
+        "kind", probes_before(at, F.col("since")).alias("a"), probes_before(at, F.col("until")).alias("z")
+    ).where("a < z")
+    ends = F.array(
+        F.struct(F.col("a").alias("i"), F.lit(1).alias("v")), F.struct(F.col("z").alias("i"), F.lit(-1).alias("v"))
+    )
+    steps = placed.select("kind", F.explode(ends).alias("e")).groupBy("e.i").agg(
+        *[F.sum(F.when(F.col("kind") == k, F.col("e.v"))).alias(k) for k in kinds]
+    )
+    instants = F.array(*[F.lit(p) for p in at])
+    axis = probes.sparkSession.range(len(at)).select(
+        F.col("id").cast("int").alias("i"), F.element_at(instants, F.col("id").cast("int") + 1).alias("probe")
+    )
+    run = Window.orderBy("i").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    counted = axis.join(steps, "i", "left").select(
+        "probe", *[F.coalesce(F.sum(k).over(run), F.lit(0)).alias(k) for k in kinds]
+    )
+    return probes.join(counted, "probe")
+
+
 def look_ahead_audit(
     available: DataFrame, keys: Sequence[str], probes: DataFrame, visible_from: Column | None = None
 ) -> DataFrame:
@@ -288,9 +334,7 @@ def look_ahead_audit(
     is an interval; its first and last probe are counted, and running sums of the counts give all probes. Rows are
     compared with their key's alone and nothing is multiplied by the number of probes (``MAX_PROBES`` at most).
     """
-    at = [r[0] for r in probes.select("probe").distinct().orderBy("probe").limit(MAX_PROBES + 1).collect()]
-    if len(at) > MAX_PROBES:
-        raise ValueError(f"more than {MAX_PROBES} probes; audit them in parts")
+    at = probe_instants(probes)
     if not at:
         return probes.select("probe", F.lit(0).cast("bigint").alias("leaked"), F.lit(0).cast("bigint").alias("visible"))
     seen = F.greatest("available_at", "recorded_at") if visible_from is None else visible_from
@@ -298,16 +342,7 @@ def look_ahead_audit(
     shown = available.select(*keys, "recorded_at", "available_at", seen.alias("__from")).where("__from is not null")
     shown = shown.withColumn("__until", F.min("__from").over(later))
     instants = F.array(*[F.lit(p) for p in at])
-
-    def before(instant: str) -> Column:
-        """How many probes are before an instant: a binary search."""
-        steps = [1 << b for b in reversed(range(len(at).bit_length()))]
-        place = F.lit(0)
-        for step in steps:
-            here = F.try_element_at(instants, place + step)
-            place = F.when(here < F.col(instant), place + step).otherwise(place)
-        return F.coalesce(F.when(F.col(instant).isNull(), len(at)).otherwise(place), F.lit(len(at)))
-
+    before = lambda instant: probes_before(at, F.col(instant))
     placed = shown.select(before("__from").alias("a"), before("__until").alias("z"), before("available_at").alias("p"))
     ends = F.array(
         F.struct(F.col("a").alias("i"), F.lit(1).alias("v"), F.lit(0).alias("n")),

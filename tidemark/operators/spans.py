@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.instants import announcement_next_day, local_instant
-from tidemark.operators.pit import with_available_at
+from tidemark.operators.pit import interval_counts, with_available_at
 
 KEY = ("stock_id", "market")
 
@@ -240,8 +240,89 @@ def category_periods(
     null), and shown once available; an end is shown once public: a delisting from its day, a change or a category's
     end once known.
     """
-    span_key = ["stock_id", "market", "start", "end"]
-    s = spans.select("stock_id", "market", F.col("listed_on").alias("start"), F.col("delisted_on").alias("end"))
+    s = _bare(spans).withColumn("as_of", information_as_of)
+    return _periods(s, versions, anchored, categories, known, categories_public).drop("start", "end", "as_of")
+
+
+def category_views(
+    spans: DataFrame,
+    versions: DataFrame,
+    anchored: DataFrame,
+    categories: DataFrame,
+    known: Column,
+    categories_public: Column,
+) -> DataFrame:
+    """``category_periods`` of every instant at once: its columns with seen_from and seen_until (null: for ever).
+
+    What is seen of a span changes only at instants of its own: when one of its versions becomes public, when it begins or
+    ends, when the categories' changes are public and when one of its market's begins. Between these it is constant, so
+    each span is seen once per own instant, whatever the number of instants that are asked for.
+    """
+    bare = _bare(spans)
+    early = F.lit("1900-01-01").cast("timestamp_ntz")
+    own = bare.join(
+        versions.where(F.col("recorded_at") <= known).select("stock_id", "market", "effective_date", "available_at"),
+        ["stock_id", "market"],
+        "left",
+    )
+    inside = _changes_within("start", "end")
+    begins = categories.where("valid_from is not null").groupBy("market").agg(
+        F.collect_set(local_instant(F.col("valid_from"))).alias("__begins")
+    )
+    views = own.groupBy(*bare.columns).agg(F.collect_set(F.when(inside, F.col("available_at"))).alias("__own"))
+    fixed = F.array(early, categories_public, local_instant(F.col("start")), local_instant(F.col("end")))
+    instants = F.array_sort(F.array_distinct(F.array_compact(F.concat("__own", fixed, F.coalesce("__begins", F.array().cast("array<timestamp_ntz>"))))))
+    placed = views.join(begins, "market", "left").select(*bare.columns, instants.alias("x"))
+    pairs = F.arrays_zip(F.col("x").alias("a"), F.slice("x", 2, 1 << 30).alias("z"))
+    s = placed.select(*bare.columns, F.explode(pairs).alias("p")).select(
+        *bare.columns, F.col("p.a").alias("as_of"), F.col("p.z").alias("until")
+    )
+    shown = _periods(s.drop("until"), versions, anchored, categories, known, categories_public)
+    key = ["stock_id", "market", "start", "end", "as_of"]
+    until = s.select(*[F.col(c).alias(f"s_{c}") for c in key], F.col("until").alias("seen_until"))
+    return shown.join(until, [F.col(c).eqNullSafe(F.col(f"s_{c}")) for c in key]).select(
+        *[c for c in shown.columns if c not in ("start", "end", "as_of")], F.col("as_of").alias("seen_from"), "seen_until"
+    )
+
+
+def ends_audit(views: DataFrame, public: DataFrame, categories: DataFrame, categories_public: Column, probes: DataFrame) -> DataFrame:
+    """(probe, visible, late, ends_not_yet_public) of a read of category periods at every probe instant.
+
+    ``views`` is the read under test, with seen_from and seen_until. ``late``: periods available only after the probe.
+    ``ends_not_yet_public``: periods whose end is neither past on the probe's day, nor a change or rename public by then
+    (the first instant at which ``public``, the views of the right read, have a period that begins so), nor the end of a category
+    once the categories' changes are public.
+    """
+    begun = public.where("basis in ('change', 'rename')").groupBy(
+        "stock_id", "market", F.col("effective_from").alias("effective_to")
+    ).agg(F.min("available_at").alias("__public"))
+    closed = categories.where("valid_to is not null").select(F.col("valid_to").alias("effective_to")).distinct()
+    closed = closed.withColumn("__closed", categories_public)
+    v = views.join(begun, ["stock_id", "market", "effective_to"], "left").join(F.broadcast(closed), "effective_to", "left")
+    right = F.least(local_instant(F.col("effective_to")), "__public", "__closed")
+    kinds = F.array(
+        F.struct(F.lit("visible").alias("kind"), F.col("seen_until").alias("until")),
+        F.struct(F.lit("late").alias("kind"), F.least("seen_until", "available_at").alias("until")),
+        F.when(
+            F.col("effective_to").isNotNull(),
+            F.struct(F.lit("ends_not_yet_public").alias("kind"), F.least("seen_until", right).alias("until")),
+        ),
+    )
+    intervals = v.select(F.col("seen_from").alias("since"), F.explode(F.array_compact(kinds)).alias("k"))
+    return interval_counts(
+        intervals.select("k.kind", "since", "k.until"), probes, ("visible", "late", "ends_not_yet_public")
+    )
+
+
+def _bare(spans: DataFrame) -> DataFrame:
+    return spans.select("stock_id", "market", F.col("listed_on").alias("start"), F.col("delisted_on").alias("end"))
+
+
+def _periods(
+    s: DataFrame, versions: DataFrame, anchored: DataFrame, categories: DataFrame, known: Column, categories_public: Column
+) -> DataFrame:
+    """The periods of every span and instant of ``s`` (stock_id, market, start, end, as_of), see ``category_periods``."""
+    span_key, information_as_of = ["stock_id", "market", "start", "end", "as_of"], F.col("as_of")
     v = versions.where(F.col("recorded_at") <= known).select(
         "stock_id", "market", "effective_date", "old_industry", "new_industry", "recorded_at", "available_at"
     )
@@ -271,9 +352,12 @@ def category_periods(
         F.lit("change").alias("basis"),
         F.col("p.available_at").alias("available_at"),
     )
-    a = anchored.select(
-        "stock_id", "market", F.col("listed_on").alias("start"), F.col("delisted_on").alias("end"), "anchor_code"
-    )
+    held = anchored.select(*[F.col(c).alias(f"a_{c}") for c in ("stock_id", "market", "listed_on", "delisted_on")], "anchor_code")
+    of_span = [
+        F.col("stock_id") == F.col("a_stock_id"), F.col("market") == F.col("a_market"),
+        F.col("start").eqNullSafe(F.col("a_listed_on")), F.col("end").eqNullSafe(F.col("a_delisted_on")),
+    ]
+    a = s.join(held, of_span).select(*span_key, "anchor_code")
     same = [F.col(f"x_{c}").eqNullSafe(F.col(c)) for c in span_key]
     has = day.select(*[F.col(c).alias(f"x_{c}") for c in span_key]).distinct()
     anchor = a.join(has, same, "left_anti").select(
@@ -331,8 +415,7 @@ def category_periods(
         nxt.isNotNull(), F.when(ceased & (F.col("until") < nxt), F.col("until")).otherwise(nxt)
     ).when(ceased, F.col("until"))
     return seen.select(
-        "stock_id",
-        "market",
+        *span_key,
         F.col("code").alias("industry_code"),
         "basis",
         F.col("since").alias("effective_from"),

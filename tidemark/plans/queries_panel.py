@@ -10,6 +10,7 @@ from tidemark.plans.queries_metrics import _LEVELS, _Q, levels
 from tidemark.plans.registry import query
 from tidemark.sources import payloads
 from tidemark.sources.payloads import long_to_wide_levels
+from tidemark.sources.tables import scratch_folder
 
 SERIES = ["stock_id", "source"]
 KEY = [*SERIES, "trade_date"]
@@ -338,32 +339,32 @@ def periods(spark, d):
     )
 
 
-#: The periods by plain joins and windows, as one instant sees them.
-_PERIODS = f"""{_ANCHOR}, {_CHG},
+#: The periods by plain joins and windows, as every instant t of ``asof`` sees them.
+_SEEN = f"""{_ANCHOR}, {_CHG}, instant as (INSTANTS),
     cat as (select c::varchar as code, m as market, case when c = 3 then date '2024-01-10' end as valid_from,
         case when c = 4 then date '2024-01-20' end as valid_to, case when c = 2 then date '2024-01-12' end as renamed_on
         from range(5) t(c), (values ('sii'), ('otc')) u(m)),
-    inside as (select s.stock_id, s.market, s.listed_on as a, s.delisted_on as z, v.effective_date as e, v.old_industry,
-        v.new_industry, v.recorded_at, v.available_at, v.available_at <= timestamp '2024-01-22' as public
-        from spans s join cv v using (stock_id, market) where v.recorded_at <= timestamp '2024-01-25'
+    inside as (select t, s.stock_id, s.market, s.listed_on as a, s.delisted_on as z, v.effective_date as e, v.old_industry,
+        v.new_industry, v.recorded_at, v.available_at, v.available_at <= t as public
+        from spans s join cv v using (stock_id, market) cross join instant where v.recorded_at <= timestamp '2024-01-25'
         and (listed_on is null or listed_on < effective_date) and (delisted_on is null or effective_date < delisted_on)),
-    days as (select stock_id, market, a, z, e, arg_max(new_industry, recorded_at) filter (public) as said,
+    days as (select t, stock_id, market, a, z, e, arg_max(new_industry, recorded_at) filter (public) as said,
         arg_max(old_industry, recorded_at) filter (public) as was, arg_max(available_at, recorded_at) filter (public) as said_at,
-        arg_min(old_industry, recorded_at) as first_was, row_number() over (partition by stock_id, market, a, z order by e) as k
-        from inside group by 1, 2, 3, 4, 5),
+        arg_min(old_industry, recorded_at) as first_was, row_number() over (partition by t, stock_id, market, a, z order by e) as k
+        from inside group by 1, 2, 3, 4, 5, 6),
     drafts as (
-        select stock_id, market, a, z, 0 as n, a as since, coalesce(was, first_was) as code, 'before_change' as basis,
+        select t, stock_id, market, a, z, 0 as n, a as since, coalesce(was, first_was) as code, 'before_change' as basis,
             coalesce(a::timestamp - interval 8 hour, timestamp '1900-01-01') as public_at from days where k = 1
-        union all select stock_id, market, a, z, k, e, said, 'change', said_at from days where said is not null
-        union all select stock_id, market, listed_on, delisted_on, 0, listed_on, anchor_code, 'anchor',
-            coalesce(listed_on::timestamp - interval 8 hour, timestamp '1900-01-01') from anc x where not exists (
-            select 1 from days d where d.stock_id = x.stock_id and d.market = x.market
+        union all select t, stock_id, market, a, z, k, e, said, 'change', said_at from days where said is not null
+        union all select t, stock_id, market, listed_on, delisted_on, 0, listed_on, anchor_code, 'anchor',
+            coalesce(listed_on::timestamp - interval 8 hour, timestamp '1900-01-01') from anc x cross join instant where not exists (
+            select 1 from days d where d.t = instant.t and d.stock_id = x.stock_id and d.market = x.market
             and d.a is not distinct from x.listed_on and d.z is not distinct from x.delisted_on)),
-    followed as (select *, lead(since) over (partition by stock_id, market, a, z order by n) as next from drafts),
+    followed as (select *, lead(since) over (partition by t, stock_id, market, a, z order by n) as next from drafts),
     named as (select f.*, coalesce(next, z) as until, valid_from, valid_to, renamed_on,
         case when next is null then z::timestamp - interval 8 hour end as ended
         from followed f left join cat using (code, market)),
-    clipped as (select stock_id, market, a, z, n, code, basis, renamed_on,
+    clipped as (select t, stock_id, market, a, z, n, code, basis, renamed_on,
         case when late then valid_from else since end as since,
         case when late then greatest(public_at, valid_from::timestamp - interval 8 hour) else public_at end as public_at,
         case when early then valid_to else until end as until,
@@ -373,20 +374,21 @@ _PERIODS = f"""{_ANCHOR}, {_CHG},
     marked as (select *, renamed_on is not null and (since is null or since < renamed_on)
         and (until is null or renamed_on < until) as cut from clipped where until is null or since is null or since < until),
     pieces as (
-        select stock_id, market, a, z, n, code, since, until, basis, public_at, ended from marked where not cut
-        union all select stock_id, market, a, z, n, code, since, renamed_on, basis, public_at, timestamp '2024-01-05' from marked where cut
-        union all select stock_id, market, a, z, n, code, renamed_on, until, 'rename', greatest(public_at, timestamp '2024-01-05'), ended
+        select t, stock_id, market, a, z, n, code, since, until, basis, public_at, ended from marked where not cut
+        union all select t, stock_id, market, a, z, n, code, since, renamed_on, basis, public_at, timestamp '2024-01-05' from marked where cut
+        union all select t, stock_id, market, a, z, n, code, renamed_on, until, 'rename', greatest(public_at, timestamp '2024-01-05'), ended
             from marked where cut),
-    seen as (select *, lead(since) over (partition by stock_id, market, a, z order by n, since nulls first) as next,
-        until is not null and coalesce(ended <= timestamp '2024-01-22', false) as ceased from pieces
-        where public_at <= timestamp '2024-01-22'),
-    periods as (select stock_id, market, code as industry_code, basis, since as effective_from,
+    seen as (select *, lead(since) over (partition by t, stock_id, market, a, z order by n, since nulls first) as next,
+        until is not null and coalesce(ended <= t, false) as ceased from pieces
+        where public_at <= t),
+    periods as (select t, stock_id, market, code as industry_code, basis, since as effective_from,
         case when next is not null then case when ceased and until < next then until else next end
             when ceased then until end as effective_to, public_at as available_at from seen)"""
+_PERIODS = _SEEN.replace("INSTANTS", "select timestamp '2024-01-22' as t")
 
 
 @query(
-    "span_category_periods", days="effective_from effective_to", sql=f"{_PERIODS} select * from periods"
+    "span_category_periods", days="effective_from effective_to", sql=f"{_PERIODS} select * exclude (t) from periods"
 )
 def category_periods(spark, d):
     """Category periods as one instant sees them; scenarios with hand-made answers are in the tests."""
@@ -407,6 +409,46 @@ def overlap_and_last(spark, d):
     return a.unionByName(b)
 
 
+#: Two reads at every probe: as each instant sees it, and what is known last shown from each period's own instant on.
+_ENDS = _SEEN.replace(
+    "INSTANTS",
+    """select distinct available_at + to_seconds(x) as t from cv, (select unnest([-1, 0]) as x)
+        union select timestamp '2024-01-10 12:00:00' union select timestamp '2100-01-01'""",
+)
+
+
+@query(
+    "span_interval_ends",
+    f"""{_ENDS}, public as (select stock_id, market, effective_from as d, min(available_at) as at_first from periods
+        where basis in ('change', 'rename') group by 1, 2, 3),
+    reads as (select 'by_instant' as read, * from periods
+        union all select 'all_known', i.t, p.* exclude (t) from periods p, instant i where p.t = timestamp '2100-01-01' and available_at <= i.t),
+    judged as (select read, t, available_at > t as late, effective_to is not null and effective_to > (t + interval 8 hour)::date
+            and coalesce(at_first > t, true) and not (effective_to = date '2024-01-20' and t >= timestamp '2024-01-05') as leaked
+        from reads r left join public u on u.stock_id = r.stock_id and u.market = r.market and u.d = r.effective_to)
+    select k.read, a.t as probe, count(j.t) as visible, count(*) filter (late) as late, count(*) filter (leaked) as ends_not_yet_public
+    from instant a cross join (values ('by_instant'), ('all_known')) k(read) left join judged j on j.t = a.t and j.read = k.read
+    group by 1, 2""",
+)
+def _(spark, d):
+    """The right read has no end before it is public; one that shows what is known last has."""
+    t = lambda x: F.lit(x).cast("timestamp_ntz")
+    v, cats, public_at = spans.change_versions(changes(spark, d)), categories(spark), t("2024-01-05 00:00:00")
+    path = scratch_folder(spark, "views")
+    spans.category_views(
+        span_table(spark, d), v, anchored(spark, d), cats, t("2024-01-25 00:00:00"), public_at
+    ).write.parquet(path)
+    views = spark.read.parquet(path)
+    known = views.where("seen_until is null").withColumn("seen_from", F.col("available_at"))
+    instants = v.select(F.explode(F.array(F.col("available_at") - F.expr("interval 1 second"), "available_at")).alias("probe"))
+    probes = instants.unionByName(spark.range(1).select(F.explode(F.array(t("2024-01-10 12:00:00"), t("2100-01-01"))).alias("probe"))).distinct()
+    audits = [
+        spans.ends_audit(read, views, cats, public_at, probes).select(F.lit(name).alias("read"), "*")
+        for name, read in (("by_instant", views), ("all_known", known))
+    ]
+    return audits[0].unionByName(audits[1])
+
+
 @query(
     "span_chain_issues",
     days="listed_on delisted_on effective_date",
