@@ -87,3 +87,44 @@ def test_conflicting_values(spark):
         f"so {item.replace('12', '13', 1).replace('a farmer', 'a man')} it was",
     ]
     assert found(spark, docs, [item, merged]) == {(0, 0), (1, 1), (2, 0)}
+
+
+def leaked(spark, docs, items):
+    """(doc_id, item_id, coverage) of (id, text) rows."""
+    rows = decontamination.leaks(
+        spark.createDataFrame(docs, "doc_id bigint, text string"), spark.createDataFrame(items, "item_id bigint, text string")
+    )
+    return sorted(((x.doc_id, x.item_id, round(x.coverage, 6)) for x in rows.collect()), key=str)
+
+
+def test_number_words_and_compound_names(spark):
+    """Number words of any size, hyphened ones, names with capitals inside, joined names and initials are slots."""
+    items = [
+        (1, "There is one bag that holds 12 marbles and seventy-five boxes stand on the long wooden table outside today."),
+        (2, "In the morning McDonald gave Anne-Marie some of the old coins that J. O'Brien had left on the shelf."),
+    ]
+    docs = [
+        (1, "There is two bag that holds 40 marbles and nineteen boxes stand on the long wooden table outside today."),
+        (2, "In the morning MacArthur gave Jean-Luc some of the old coins that K. Miller had left on the shelf."),
+        (3, "In the morning someone gave nobody any of the new coins that he had lost in the long grass there."),
+    ]
+    assert leaked(spark, docs, items) == [(1, 1, 1.0), (2, 2, 1.0)]
+    kind = lambda w: decontamination.Templates.attribute(w)[1:4]
+    assert kind("J.") == (0, True, False) and kind("twenty-one,") == (1, False, False)
+    assert [kind(w)[1] for w in ("NASA", "McDonald", "Anne-Marie", "O'Brien", "Ünal", "x-ray", "III", "I")] == [
+        False, True, True, True, True, False, False, False
+    ]
+
+
+def test_preambles_that_many_items_share(spark, monkeypatch):
+    """Windows of more items than ``SHARED`` are looked up for candidates only, and every result stays the same."""
+    words = lambda seed, n: [f"w{seed}x{i}" for i in range(n)]
+    preamble = words("p", 12)
+    items = [(k, " ".join(preamble + words(k, 14))) for k in range(30)] + [(99, " ".join(preamble + ["tail"] * 2))]
+    docs = [(k, " ".join(preamble + words(k, 14))) for k in range(5)]
+    docs += [(10, " ".join(preamble)), (11, " ".join(words(7, 14) + preamble)), (None, " ".join(["x"] + preamble + words(8, 14)))]
+    docs += [(12, " ".join(preamble + ["y"] + words(9, 9))), (13, " ".join(preamble + ["tail", "tail"] + ["z"] * 30))]
+    want = leaked(spark, docs, items)
+    assert {(d, i) for d, i, _ in want} >= {(11, 7), (10, 99), (None, 8), (0, 0)}
+    monkeypatch.setattr(decontamination, "SHARED", 5)
+    assert leaked(spark, docs, items) == want

@@ -20,14 +20,18 @@ from functools import reduce
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import text_udf, without_ids, written
 
 #: Number words and units that become placeholders.
 NUMBER_WORDS = frozenset(
-    "two three four five six seven eight nine ten eleven twelve twenty thirty forty fifty hundred thousand million".split()
+    (
+        "zero one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen seventeen "
+        "eighteen nineteen twenty thirty forty fifty sixty seventy eighty ninety hundred thousand million billion "
+        "twice half dozen"
+    ).split()
 )
 UNITS = frozenset(
     "km m cm mm mi ft kg g mg lb oz l ml s min h hours hour minutes minute seconds days weeks months years dollars euros cents usd eur mph kmh km/h °c °f % $ € £".split()
@@ -44,6 +48,9 @@ _KINDS = {**dict.fromkeys(UNITS, 3), **dict.fromkeys(NUMBER_WORDS, 1)}
 #: Last characters of a word that end a sentence.
 ENDS = frozenset(".!?:;\"”»")
 _NUMBER = re.compile(r"[-+]?[$€£]?\d[\d.,:/]*(?:st|nd|rd|th|%|[a-zµ]{1,3})?\Z")
+#: A capitalised word with small letters; parts may be joined (Anne-Marie, O'Brien) and have capitals inside (McDonald).
+_NAMED = re.compile(r"(?=.*[^\W\d_A-ZÀ-ÖØ-Þ])[^\W\d_]+(?:['’-][^\W\d_]+)*\Z")
+_INITIAL = re.compile(r"[^\W\d_a-zß-öø-ÿ]\.\Z")
 _EDGES = re.compile(r"\A[^\w$€£%°+-]+|[^\w%°]+\Z")
 #: Template tokens kept in a task; beyond it the cache starts anew (results don't change).
 CACHE_WORDS = 150_000
@@ -52,6 +59,8 @@ FILTER_BITS = 24
 SLOTTED, NAMED, NUMBERS, EXACT = range(4)
 #: Items below this many words match whole lines.
 MIN_WINDOW = 3
+#: A window that more items than this hold is looked up for candidate pairs only.
+SHARED = 100
 #: Added to the seed of windows read with fewer slots, times the reading.
 SEED = 1 << 32
 
@@ -92,12 +101,16 @@ class Templates:
             core, ends = _EDGES.sub("", word), word[-1] in ENDS
         low = core.lower()
         own = _digest((low or word).encode())
-        kind = _KINDS.get(low, 0) or (1 if not low.isalpha() and _NUMBER.match(low) else 0)
+        kind = _KINDS.get(low, 0)
+        if not kind and not low.isalpha():
+            counted = "-" in low and all(part in NUMBER_WORDS for part in low.split("-"))
+            kind = 1 if counted or _NUMBER.match(low) else 0
         if kind:
             return NUMBER_HASH if kind == 1 else UNIT_HASH, kind, False, ends, own, low in COMMON
-        return own, 0, core != low and len(core) > 1 and core[0].isupper() and core[
-            1:
-        ].islower(), ends, own, low in COMMON
+        if _INITIAL.match(word):
+            return own, 0, word[0].isupper(), False, own, False
+        named = core != low and len(core) > 1 and core[0].isupper()
+        return own, 0, named and (core[1:].islower() and core.isalpha() or bool(_NAMED.match(core))), ends, own, low in COMMON
 
     def learn(self, words: set[str]) -> None:
         new = words.difference(self.index)
@@ -239,6 +252,51 @@ def _windows(
     return found.select(F.col(f"{id_col}_").alias(id_col), "w.pos", "w.hash", "w.slots", "w.rich", "w.reading")
 
 
+def _hits(found: DataFrame, whole: DataFrame, min_coverage: float) -> DataFrame:
+    """(doc_id, item_id, hash, shift, way, slots, item_slots, at, rich): windows of documents beside the items' windows
+    that they match, all of them for every pair that can reach ``min_coverage``.
+
+    Windows that more than ``SHARED`` items hold (a preamble of a benchmark) are not multiplied by their items: they
+    are looked up only for candidate pairs, those that share another window or one of the item's rarest. A pair of the
+    coverage matches one of the item's ``W - ceil(coverage * W) + 1`` rarest places, whichever it matches.
+    """
+    first = F.min(F.struct("pos", "slots")).alias("first")
+    ours = whole.groupBy("item_id", "hash", F.col("reading").alias("item_reading")).agg(
+        first, F.collect_set("pos").alias("at")
+    )
+    shift, way = (F.col("pos") - F.col("first.pos")).alias("shift"), (
+        F.col("reading") * 4 + F.col("item_reading")
+    ).alias("way")
+    shown = [
+        "doc_id", "item_id", "hash", shift, way, "slots", F.col("first.slots").alias("item_slots"), "at", "rich"
+    ]
+    holders = whole.groupBy("hash").agg(F.countDistinct("item_id").alias("items"))
+    shared = written(holders.where(F.col("items") > SHARED), "benchmark-shared")
+    if shared.isEmpty():
+        return found.join(ours, "hash").select(shown)
+
+    found = written(found, "benchmark-found")
+    few = found.join(ours.join(shared, "hash", "left_anti"), "hash").select(shown)
+    places = whole.join(holders, "hash").groupBy("item_id", "pos").agg(
+        F.max("items").alias("items"), F.max("rich").alias("rich")
+    )
+    rare = None
+    for kind in (places, places.where("rich")):
+        w = Window.partitionBy("item_id")
+        ranked = kind.select(
+            "item_id", "pos", F.row_number().over(w.orderBy("items", "pos")).alias("k"), F.count("*").over(w).alias("n")
+        ).where(F.col("k") <= F.col("n") - F.ceil(F.col("n") * min_coverage - 1e-9) + 1)
+        rare = ranked if rare is None else rare.unionByName(ranked)
+    telling = whole.join(rare, ["item_id", "pos"], "left_semi").join(shared, "hash", "left_semi")
+    candidates = few.select("doc_id", "item_id").unionByName(
+        found.join(telling.select("hash", "item_id").distinct(), "hash").select("doc_id", "item_id")
+    ).distinct()
+    pairs = candidates.select(F.col("doc_id").alias("c_doc_id"), "item_id")
+    common = found.join(shared.select("hash"), "hash", "left_semi")
+    many = common.join(pairs, F.col("doc_id").eqNullSafe(F.col("c_doc_id"))).join(ours, ["item_id", "hash"])
+    return few.unionByName(many.select(shown))
+
+
 def leaks(
     docs: DataFrame,
     benchmark: DataFrame,
@@ -278,17 +336,7 @@ def leaks(
     keep = np.packbits(keep, bitorder="little")
     texts = docs.where(F.col(text_col).isNotNull())
     found = _windows(texts, id_col, text_col, rules, [rules.window, *short], keep).withColumnRenamed(id_col, "doc_id")
-    first = F.min(F.struct("pos", "slots")).alias("first")
-    ours = whole.groupBy("item_id", "hash", F.col("reading").alias("item_reading")).agg(
-        first, F.collect_set("pos").alias("at")
-    )
-    shift, way = (F.col("pos") - F.col("first.pos")).alias("shift"), (
-        F.col("reading") * 4 + F.col("item_reading")
-    ).alias("way")
-    joined = found.join(ours, "hash").select(
-        "doc_id", "item_id", "hash", shift, way, "slots", F.col("first.slots").alias("item_slots"), "at", "rich"
-    )
-    hits = written(joined, "benchmark-hits")
+    hits = written(_hits(found, whole, rules.min_coverage), "benchmark-hits")
     key = ["doc_id", "item_id", "shift", "way"]
     zipped = hits.select(*key, F.explode(F.arrays_zip("item_slots", "slots")).alias("z"))
     pairs = zipped.select(*key, F.col("z.item_slots").alias("x"), F.col("z.slots").alias("y")).distinct()
