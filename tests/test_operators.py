@@ -431,6 +431,16 @@ def test_amounts(spark):
         ("Infinity", None, None): (None, True),
         ("1 000", None, 0): (1000.0, False),
         ("0.000001", None, -6): (1e-12, False),
+        ("1e30", None, None): (None, True),
+        ("9" * 26, None, 6): (None, True),
+        ("9" * 26, None, 0): (float("9" * 26), False),
+        ("0.0000000000001", None, 0): (None, True),
+        ("0.0000000000001", None, 1): (1e-12, False),
+        ("1.50e-11", None, 0): (1.5e-11, False),
+        ("1000", None, -15): (1e-12, False),
+        ("1.0000000000000", None, 0): (1.0, False),
+        ("0e900000", None, 0): (0.0, False),
+        (".5", "-", 1): (-5.0, False),
     }
     rows = spark.createDataFrame(list(cases), "t string, s string, p int")
     got = rows.select(scalar.accounting_amount(F.col("t"), F.col("s"), F.col("p")).alias("a")).select("a.*").collect()
@@ -885,3 +895,36 @@ def test_interval_ends_are_audited_at_every_instant(spark):
     leak = views.where("seen_until is null").withColumn("seen_from", F.lit(T(2023, 6, 21)).cast("timestamp_ntz"))
     found = {r.probe: (r.late, r.ends_not_yet_public) for r in spans.ends_audit(leak, views, cats, public, asked).collect()}
     assert found[T(2023, 6, 21)] == (2, 1) and found[T(2023, 8, 19)] == (1, 1) and found[T(2023, 8, 21)] == (0, 0)
+
+
+def test_several_sources_are_refused_unless_dropped(spark):
+    df = spark.createDataFrame([("1", "a"), ("1", "b"), ("2", "a")], "stock_id string, source string")
+    with pytest.raises(ValueError, match="stock 1 has several sources"):
+        pit.single_source(df)
+    assert [r.stock_id for r in pit.single_source(df, several="drop").collect()] == ["2"]
+    assert pit.single_source(df.where("stock_id = '2'"), df.where("stock_id = '2'")).count() == 1
+    with pytest.raises(ValueError, match="unknown stock 3"):
+        pit.single_source(df, df.selectExpr("'3' as stock_id"), several="drop")
+
+
+def test_streak_and_indicator_classes(spark):
+    axis = spark.createDataFrame(
+        [
+            (stock, "a", D(2024, 1, d), 1.0, -1.0 if d == flip else 1.0, float(d), float(d - (d >= flip)), True, d != gap)
+            for stock, flip, gap in (("moved", 3, 0), ("days", 3, 3), ("other", 5, 0), ("sign", 4, 0), ("old", 2, 0))
+            for d in range(1, 8)
+        ],
+        "stock_id string, source string, trade_date date, ours_sign double, theirs_sign double, ours_streak double, theirs_streak double, in_ours boolean, in_theirs boolean",
+    )
+    axis = axis.withColumns({c: F.when(F.col("stock_id") == "old", F.lit(v)).otherwise(F.col(c)) for c, v in (("ours_streak", 2.0), ("theirs_streak", 1.0))})
+    one = lambda v, c: spark.createDataFrame([(v,)], f"{c}")
+    got = reconcile.streak_classes(axis, one("moved", "stock_id string"), one(D(2024, 1, 5), "trade_date date"))
+    seen = {r.stock_id: r.diff_class for r in got.where("trade_date = '2024-01-07'").collect()}
+    assert seen == {"moved": "market_transfer", "days": "day_sets_differ", "other": "captured_another_date", "sign": "net_sign_differs", "old": "unexplained"}
+
+    days = [(s, "a", D(2024, 1, d), False, d == 3 or (s == "two" and d == 4), d == 3) for s in ("one", "two") for d in range(1, 8)]
+    axis = spark.createDataFrame(days, "stock_id string, source string, trade_date date, dropped boolean, volume_differs boolean, frozen boolean")
+    diff = axis.select(*KEY, F.explode(F.array(F.lit("vma5"), F.lit("ma5"))).alias("metric"), F.lit(1.0).alias("ours"), F.lit(2.0).alias("theirs"))
+    found = reconcile.indicator_classes(diff, axis, {"vma5": 5, "ma5": 5}, diff.limit(0)).collect()
+    frozen = {(r.stock_id, r.trade_date.day) for r in found if r.diff_class == "frozen_volume"}
+    assert frozen == {("one", d) for d in (3, 4, 5, 6, 7)} and {r.metric for r in found if r.diff_class == "frozen_volume"} == {"vma5"}

@@ -155,22 +155,29 @@ def accounting_amount(text: Column, sign: Column, power: Column) -> Column:
     """(value, bad): an amount with parentheses for minus, a sign attribute and a power-of-ten scale of either sign.
 
     A text that is no number is a placeholder (null) if it is short, else bad. Parentheses beside a sign attribute,
-    a sign attribute other than a minus, and numbers that aren't finite are bad.
+    a sign attribute other than a minus, and numbers that aren't finite are bad; so is an amount that the result's
+    decimal(38,12) can't hold to the last digit, which must not pass for a missing one.
     """
     bare = F.regexp_replace(text, r"[,\s]", "")
     closed = bare.rlike(r"^\(.*\)$")
     cleaned = F.when(closed, F.concat(F.lit("-"), F.regexp_extract(bare, r"^\((.*)\)$", 1))).otherwise(bare)
-    amount = cleaned.try_cast("decimal(38,12)")
     signed, minus = F.coalesce(sign != "", F.lit(False)), F.coalesce(sign == "-", F.lit(False))
     infinite = cleaned.rlike(r"(?i)^[+-]?(s?nan\d*|inf|infinity)$")
-    bad = (closed & signed) | infinite | F.when(
-        amount.isNull(), F.length(cleaned) > PLACEHOLDER_LENGTH
-    ).otherwise(signed & ~minus)
-    scaled = F.concat(
-        amount.cast("string"), F.lit("E"), F.coalesce(power, F.lit(0)).cast("string")
-    ).try_cast("decimal(38,12)")
-    value = F.when(~bad, F.when(minus, -scaled).otherwise(scaled))
-    return F.struct(value.cast("decimal(38,12)").alias("value"), bad.alias("bad"))
+    number = F.coalesce(cleaned.rlike(r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d{1,6})?$"), F.lit(False))
+
+    mantissa = F.regexp_extract(cleaned, r"^([^eE]*)", 1)
+    own = F.coalesce(F.regexp_extract(cleaned, r"[eE]([+-]?\d+)$", 1).try_cast("int"), F.lit(0))
+    exponent = own + F.coalesce(power, F.lit(0))
+    decimals = F.length(F.regexp_extract(mantissa, r"\.(\d*?)0*$", 1))
+    zeros = F.when(decimals == 0, F.length(F.regexp_extract(mantissa, r"(0*)\.?0*$", 1))).otherwise(0)
+    scaled = F.when(mantissa.rlike("[1-9]"), F.concat(mantissa, F.lit("E"), exponent.cast("string"))).otherwise("0")
+    value = scaled.try_cast("decimal(38,12)")
+    lost = value.isNull() | (mantissa.rlike("[1-9]") & (decimals - zeros - exponent > 12))
+    bad = (closed & signed) | infinite | F.when(~number, F.length(cleaned) > PLACEHOLDER_LENGTH).otherwise(
+        (signed & ~minus) | lost
+    )
+    shown = F.when(number & ~bad, F.when(minus, -value).otherwise(value))
+    return F.struct(shown.cast("decimal(38,12)").alias("value"), bad.alias("bad"))
 
 
 def split_code_name(text: Column) -> Column:

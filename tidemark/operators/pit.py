@@ -241,13 +241,23 @@ def with_lineage(df: DataFrame, series: Sequence[str], date: str) -> DataFrame:
     return df.join(prints, keys)
 
 
-def single_source(df: DataFrame, stocks: DataFrame | None = None) -> DataFrame:
-    """The rows of stocks with exactly one source (E19); with ``stocks``, one without any rows fails the job."""
+def single_source(df: DataFrame, stocks: DataFrame | None = None, several: str = "refuse") -> DataFrame:
+    """The rows of stocks with exactly one source (E19); with ``stocks``, one without any rows fails the job.
+
+    Sources of a stock are never joined: one with several is refused by name, or left out where the caller says
+    ``several="drop"``.
+    """
+    if several not in ("refuse", "drop"):
+        raise ValueError(f"several is refuse or drop, not {several}")
     per_stock = df.groupBy("stock_id").agg(F.min("source").alias("a"), F.max("source").alias("z"))
     if stocks is not None:
         unknown = stocks.join(per_stock, "stock_id", "left_anti").limit(1).collect()
         if unknown:
             raise ValueError(f"unknown stock {unknown[0].stock_id}")
+    if several == "refuse":
+        many = per_stock.where("a <> z").limit(1).collect()
+        if many:
+            raise ValueError(f"stock {many[0].stock_id} has several sources, {many[0].a} and {many[0].z}; choose one")
     return df.join(per_stock.where("a = z").select("stock_id"), "stock_id", "left_semi")
 
 

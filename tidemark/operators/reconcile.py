@@ -8,6 +8,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.operators.sizes import small
+
 SERIES = ("stock_id", "source")
 
 
@@ -128,29 +130,43 @@ def ratio_classes(
     return j.withColumn("diff_class", kind).drop("__k")
 
 
-def streak_classes(axis: DataFrame, series: Sequence[str] = SERIES, date: str = "trade_date") -> DataFrame:
+def streak_classes(
+    axis: DataFrame,
+    transfers: DataFrame,
+    other_dates: DataFrame,
+    series: Sequence[str] = SERIES,
+    date: str = "trade_date",
+) -> DataFrame:
     """Streak differences (J9) on the united axis: rows have ours_streak, theirs_streak, ours_sign, theirs_sign,
     in_ours, in_theirs.
 
-    A difference reaches back max(|a|, |b|) + 1 rows. Instead of joining that run, the index of the last row where the
+    Classes, in the order they are tried: ``market_transfer`` (the stock is among ``transfers``), ``day_sets_differ``,
+    ``captured_another_date`` (a day of the run on which signs differ is one of ``other_dates``, on which the other side is known
+    to hold another day's file), ``net_sign_differs``, ``unexplained``. A difference reaches back max(|a|, |b|) + 1 rows. Instead of joining that run, the index of the last row where the
     axes (or signs) differ is carried forward; it lies in the run if it is at most the reach back.
     """
     w = Window.partitionBy(*series).orderBy(date)
     run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    i = axis.withColumn("__i", F.row_number().over(w))
-    i = i.withColumn(
-        "__axis", F.max(F.when(F.col("in_ours") != F.col("in_theirs"), F.col("__i"))).over(run)
-    ).withColumn(
-        "__sign",
-        F.max(F.when(F.coalesce("ours_sign", F.lit(0)) != F.coalesce("theirs_sign", F.lit(0)), F.col("__i"))).over(run),
+    moved = small(transfers.select("stock_id").distinct().withColumn("__moved", F.lit(True)))
+    another = small(other_dates.select(date).distinct().withColumn("__another", F.lit(True)))
+    i = axis.join(moved, "stock_id", "left").join(another, date, "left").withColumn("__i", F.row_number().over(w))
+    signs = F.coalesce("ours_sign", F.lit(0)) != F.coalesce("theirs_sign", F.lit(0))
+    last = lambda met: F.max(F.when(met, F.col("__i"))).over(run)
+    i = i.withColumns(
+        {
+            "__axis": last(F.col("in_ours") != F.col("in_theirs")),
+            "__sign": last(signs),
+            "__other": last(signs & F.col("__another")),
+        }
     )
     low = F.col("__i") - F.greatest(F.abs("ours_streak"), F.abs("theirs_streak"))
-    kind = F.when(F.col("__axis") >= low, "day_sets_differ").when(
-        F.col("__sign") >= low, "net_sign_differs"
-    ).otherwise("unexplained")
+    # The classes of differences, in the order they are tried.
+    kind = F.when(F.col("__moved"), "market_transfer").when(F.col("__axis") >= low, "day_sets_differ").when(
+        F.col("__other") >= low, "captured_another_date"
+    ).when(F.col("__sign") >= low, "net_sign_differs").otherwise("unexplained")
     return i.where(
         F.col("in_ours") & F.col("in_theirs") & (F.col("ours_streak") != F.col("theirs_streak"))
-    ).withColumn("diff_class", kind).drop("__i", "__axis", "__sign")
+    ).withColumn("diff_class", kind).drop("__i", "__axis", "__sign", "__other", "__moved", "__another")
 
 
 #: Upper bounds of difference magnitudes and their names.
@@ -175,30 +191,35 @@ def indicator_classes(
     """Indicator differences (J10): market transfer first, then whether the metric's window touches a dropped or a
     frozen-volume day.
 
-    ``differences`` has metric, ours, theirs; ``axis`` the series' days with flags dropped and frozen. The index of
-    the last flagged day is carried forward once; a window of n days touches it if it is less than n days back (no
-    length: ever before).
+    ``differences`` has metric, ours, theirs; ``axis`` the series' days with flags dropped, volume_differs and frozen. The index
+    of the last flagged day is carried forward once; a window of n days touches it if it is less than n days back (no
+    length: ever before). A frozen day explains a volume average only if it is the one day on which the stock's volumes differ
+    at all: with another such day the average may differ for that one's sake.
     """
     w = Window.partitionBy(*series).orderBy(date)
     run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    i = axis.withColumn("__i", F.row_number().over(w)).select(*series, date, "__i", "dropped", "frozen")
+    differing = axis.where("volume_differs").groupBy("stock_id").agg(
+        F.min(date).alias("__a"), F.max(date).alias("__z"), F.bool_and("frozen").alias("__frozen")
+    )
+    only = differing.where("__frozen and __a = __z").select("stock_id", F.lit(True).alias("__only"))
+    i = axis.withColumn("__i", F.row_number().over(w)).select(*series, date, "__i", "dropped", "volume_differs")
     i = i.withColumn(
         "__d", F.max(F.when(F.col("dropped"), F.col("__i"))).over(run)
-    ).withColumn("__f", F.max(F.when(F.col("frozen"), F.col("__i"))).over(run)).drop("dropped", "frozen")
+    ).withColumn("__f", F.max(F.when(F.col("volume_differs"), F.col("__i"))).over(run)).drop("dropped", "volume_differs")
     n = F.lit(None).cast("int")
     for metric, length in lengths.items():
         n = F.when(F.col("metric") == metric, length).otherwise(n)
     t = transfers.select("stock_id").distinct().withColumn("__t", F.lit(True))
-    j = differences.join(i, [*series, date]).join(t, "stock_id", "left").withColumn("__n", n)
+    j = differences.join(i, [*series, date]).join(t, "stock_id", "left").join(only, "stock_id", "left").withColumn("__n", n)
     touches = lambda c: F.col(c).isNotNull() & (F.col("__n").isNull() | (F.col("__i") - F.col(c) < F.col("__n")))
     # The classes of differences, in the order they are tried.
     kind = F.when(F.col("__t"), "market_transfer").when(touches("__d"), "dropped_no_trade_days").when(
-        F.startswith("metric", F.lit("vma")) & touches("__f"), "frozen_volume"
+        F.startswith("metric", F.lit("vma")) & F.coalesce("__only", F.lit(False)) & touches("__f"), "frozen_volume"
     ).otherwise("unexplained")
     return j.withColumn("diff_class", kind).withColumn(
         "magnitude", magnitude(F.abs(F.col("ours") - F.col("theirs")))
     ).drop(
-        "__i", "__d", "__f", "__n", "__t"
+        "__i", "__d", "__f", "__n", "__t", "__only"
     )
 
 

@@ -942,7 +942,7 @@ def _(spark, d):
 
 
 _AXIS = f"""{with_('flows')}, x as (select stock_id, source, trade_date, coalesce(sign(net), 0) as a, case when
-    day(trade_date) = 9 then 0 else coalesce(sign(net), 0) end as b, true as o, day(trade_date) % 8 <> 5 as t,
+    day(trade_date) = 9 then 0 when day(trade_date) = 17 then -coalesce(sign(net), 0) else coalesce(sign(net), 0) end as b, true as o, day(trade_date) % 8 <> 5 as t,
     row_number() over (partition by stock_id, source order by trade_date) as i from flows),
     oa as (select *, row_number() over (partition by stock_id, source, g order by trade_date) * a as k from (select *,
     sum(c) over (partition by stock_id, source order by trade_date) as g from (select *, case when a <>
@@ -957,14 +957,17 @@ _AXIS = f"""{with_('flows')}, x as (select stock_id, source, trade_date, coalesc
     "reconcile_streaks",
     f"""{_AXIS}, d as (select oa.stock_id, oa.source, oa.i, greatest(abs(oa.k), abs(tb.k)) as reach from oa join tb
     using (stock_id, source, trade_date) where oa.k <> tb.k)
-    select case when exists (select 1 from x where x.stock_id = d.stock_id and x.source = d.source and x.i between d.i
-    - reach and d.i and not t) then 'day_sets_differ' when exists (select 1 from x where x.stock_id = d.stock_id and
+    select case when d.stock_id::int % 10 = 3 then 'market_transfer' when exists (select 1 from x where x.stock_id = d.stock_id
+    and x.source = d.source and x.i between d.i - reach and d.i and not t) then 'day_sets_differ' when exists (select 1 from x where
+    x.stock_id = d.stock_id and x.source = d.source and x.i between d.i - reach and d.i and a <> b and day(trade_date) = 9)
+    then 'captured_another_date' when exists (select 1 from x where x.stock_id = d.stock_id and
     x.source = d.source and x.i between d.i - reach and d.i and a <> b) then 'net_sign_differs' else 'unexplained' end
     as diff_class, count(*) as n from d group by 1""",
 )
 def _(spark, d):
     f = flows(spark, d).select(*KEY, F.coalesce(F.signum(F.col("net").cast("double")), F.lit(0.0)).alias("a"))
-    f = f.withColumn("b", F.when(F.dayofmonth("trade_date") == 9, 0.0).otherwise(F.col("a"))).withColumn(
+    on = F.dayofmonth("trade_date")
+    f = f.withColumn("b", F.when(on == 9, 0.0).when(on == 17, -F.col("a")).otherwise(F.col("a"))).withColumn(
         "t", F.dayofmonth("trade_date") % 8 != 5
     )
     mine = metrics.streaks(f, ["a"]).select(*KEY, F.col("a_streak_days").alias("ours_streak"))
@@ -972,26 +975,32 @@ def _(spark, d):
     axis = f.join(mine, KEY).join(their, KEY, "left").withColumns(
         {"in_ours": F.lit(True), "in_theirs": F.col("t"), "ours_sign": F.col("a"), "theirs_sign": F.col("b")}
     )
-    return reconcile.streak_classes(axis).groupBy("diff_class").agg(F.count("*").alias("n"))
+    transfers = f.where("cast(stock_id as int) % 10 = 3")
+    return reconcile.streak_classes(axis, transfers, f.where(on == 9)).groupBy("diff_class").agg(F.count("*").alias("n"))
 
 
 @query(
     "reconcile_indicators",
     f"""{with_('bars')}, i as (select *, row_number() over (partition by stock_id, source order by trade_date) as i,
-    volume % 97 = 0 as dr, day(trade_date) = 13 as fr from bars),
+    volume % 97 = 0 as dr, trade_date = date '1996-03-13' or (stock_id::int % 3 = 0 and trade_date = date '1997-05-20') as fr,
+    trade_date = date '1996-03-13' as frozen from bars),
+    one as (select stock_id from i where fr group by 1 having min(trade_date) = max(trade_date) and bool_and(frozen)),
     f as (select *, max(case when dr then i end) over w as ld, max(case when fr then i end) over w as lf from i window
     w as (partition by stock_id, source order by trade_date rows unbounded preceding)), m as (select f.*, metric, len,
     case when volume % 3 = 0 then 0.0000001 when volume % 3 = 1 then 0.01 else 5 end as gap from f, (values ('ma5',
     5), ('vma20', 20), ('macd_dif', null)) t(metric, len))
     select metric, case when stock_id::int % 50 = 1 then 'market_transfer' when ld is not null and (len is null or i -
-    ld < len) then 'dropped_no_trade_days' when metric = 'vma20' and lf is not null and i - lf < 20 then
+    ld < len) then 'dropped_no_trade_days' when metric = 'vma20' and lf is not null and i - lf < 20 and stock_id in (select stock_id from one) then
     'frozen_volume' else 'unexplained' end as diff_class, case when gap < 1e-6 then 'below_1e-6' when gap < 1 then
     'below_1' else 'at_or_above_1' end as magnitude, count(*) as n from m group by 1, 2, 3""",
 )
 def _(spark, d):
-    b = bars(spark, d)
+    b, frozen = bars(spark, d), F.col("trade_date") == day("1996-03-13")
     axis = b.select(
-        *KEY, (F.col("volume") % 97 == 0).alias("dropped"), (F.dayofmonth("trade_date") == 13).alias("frozen")
+        *KEY,
+        (F.col("volume") % 97 == 0).alias("dropped"),
+        (frozen | ((F.col("stock_id").cast("int") % 3 == 0) & (F.col("trade_date") == day("1997-05-20")))).alias("volume_differs"),
+        frozen.alias("frozen"),
     )
     gap = F.when(F.col("volume") % 3 == 0, 1e-7).when(F.col("volume") % 3 == 1, 0.01).otherwise(5.0)
     diff = b.select(

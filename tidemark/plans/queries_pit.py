@@ -338,7 +338,7 @@ def _(spark, d):
             (F.col("stock_id").cast("int") % 5 == 0) & (F.col("volume") % 2 == 0), "gamma"
         ).otherwise(F.col("source")),
     )
-    return pit.single_source(v).groupBy("stock_id", "source").agg(F.count("*").alias("n"))
+    return pit.single_source(v, several="drop").groupBy("stock_id", "source").agg(F.count("*").alias("n"))
 
 
 @query(

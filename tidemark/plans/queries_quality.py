@@ -137,21 +137,21 @@ def _(spark, d):
 
 @query(
     "fn_accounting_amounts",
-    """with x as (select o_orderkey, o_orderkey % 13 as k, floor(o_totalprice)::bigint as v from orders)
-    select o_orderkey, case when k in (0, 12) then v when k in (1, 2) then -v when k = 3 then v * 1000 when k = 6 then
+    """with x as (select o_orderkey, o_orderkey % 17 as k, floor(o_totalprice)::bigint as v from orders)
+    select o_orderkey, case when k = 15 then v / 1000000000.0 when k in (0, 12) then v when k in (1, 2) then -v when k = 3 then v * 1000 when k = 6 then
     v / 100.0 when k = 7 then -v / 1000000.0 when k = 8 then v + 0.25 end::double as value,
-    k in (4, 9, 10, 11) as bad from x""",
+    k in (4, 9, 10, 11, 13, 14, 16) as bad from x""",
 )
 def _(spark, d):
-    k, v = F.col("o_orderkey") % 13, F.format_number(F.floor("o_totalprice"), 0)
+    k, v = F.col("o_orderkey") % 17, F.format_number(F.floor("o_totalprice"), 0)
     text = F.when(k.isin(1, 4), F.concat(F.lit("("), v, F.lit(")"))).when(k == 5, "see note").when(
         k == 8, F.concat(v, F.lit(".25"))
     )
     text = text.when(k == 10, "not an amount").when(k == 11, "NaN").when(
         k == 12, F.concat(F.lit(" "), v, F.lit(" "))
-    ).otherwise(v)
+    ).when(k == 13, F.concat(v, F.lit("e30"))).when(k == 14, F.concat(v, F.lit(".0000000000001"))).otherwise(v)
     sign = F.when(k.isin(2, 4, 7), "-").when(k == 9, "+").when(k == 3, "")
-    power = F.when(k == 3, 3).when(k == 6, -2).when(k == 7, -6).when(k == 0, 0)
+    power = F.when(k == 3, 3).when(k == 15, -9).when(k == 16, 30).when(k == 6, -2).when(k == 7, -6).when(k == 0, 0)
     x = orders(spark, d).select("o_orderkey", scalar.accounting_amount(text, sign, power).alias("a"))
     return x.select("o_orderkey", F.col("a.value").cast("double").alias("value"), "a.bad")
 
