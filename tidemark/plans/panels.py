@@ -241,11 +241,11 @@ CTE = {
 _NEEDS = {"versions": ["lines"], "bars": ["lines"], "available": ["lines", "versions"], "facts": ["reports"]}
 
 
-def with_(*names: str) -> str:
-    """``with`` clause of the named panels and what they need."""
+def with_(*names: str, recursive: bool = False) -> str:
+    """``with`` clause of the named panels and what they need; ``recursive`` if a query's own expressions are."""
     order: list[str] = []
     for n in names:
         for m in [*_NEEDS.get(n, []), n]:
             if m not in order:
                 order.append(m)
-    return "with " + ",\n".join(CTE[n] for n in order)
+    return ("with recursive " if recursive else "with ") + ",\n".join(CTE[n] for n in order)

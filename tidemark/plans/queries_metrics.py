@@ -18,9 +18,12 @@ def rounded(df, columns, places=6):
     return df.select(*[F.round(c, places).alias(c) if c in columns else F.col(c) for c in df.columns])
 
 
+def _mean(c, n):
+    return f"case when count({c}) over w{n} = {n} then sum({c}::decimal(28,6)) over w{n}::double / {n} end"
+
+
 def _ma(c, n):
-    return f"""round(case when count({c}) over w{n} = {n} then sum({c}::decimal(28,6)) over w{n}::double / {n} end, 6)
-    as {'v' if c == 'volume' else ''}ma{n}"""
+    return f"round({_mean(c, n)}, 6) as {'v' if c == 'volume' else ''}ma{n}"
 
 
 MOVING_SQL = f"""{with_('bars')} select stock_id, source, trade_date,
@@ -51,7 +54,7 @@ def _(spark, d):
     return rounded(rounded(out, ["bb_middle", "bb_upper", "bb_lower"], 4), ["rsv"])
 
 
-KD_SQL = f"""{with_('bars').replace('with ', 'with recursive ', 1)}, x as (select *, row_number() over (partition by
+KD_SQL = f"""{with_('bars', recursive=True)}, x as (select *, row_number() over (partition by
     stock_id, source order by trade_date) as i, count(*) over v as n, min(low) over v as lo, max(high) over v as hi
     from bars
         window v as (partition by stock_id, source order by trade_date rows between 8 preceding and current row)),
@@ -74,7 +77,7 @@ def _(spark, d):
     return rounded(metrics.recurrences(metrics.rsv(bars(spark, d))).select(*KEY, *names), names, 4)
 
 
-_RSI = f"""{with_('bars').replace('with ', 'with recursive ', 1)}, y as materialized (select stock_id, source,
+_RSI = f"""{with_('bars', recursive=True)}, y as materialized (select stock_id, source,
     trade_date, row_number() over w as i, close - lag(close) over w as ch from bars window w as (partition by
     stock_id, source order by trade_date)),
     r as (select stock_id, source, trade_date, i, 0.0::double as g6, 0.0::double as l6, 0.0::double as g12,
@@ -480,7 +483,7 @@ def _panel(spark, d):
 _FULL = f"""{with_('versions')}, n as (select * from versions qualify row_number() over (partition by stock_id,
     source, trade_date order by recorded_at desc) = 1),
     c as (select stock_id, source, trade_date,
-    {', '.join(x.replace('round(', '(').replace(', 6)', ')') for x in (_ma('close', 5), _ma('close', 20), _ma('volume', 20)))}
+    {_mean('close', 5)} as ma5, {_mean('close', 20)} as ma20, {_mean('volume', 20)} as vma20
     from n window
     {', '.join(f'w{k} as (partition by stock_id, source order by trade_date rows between {k - 1} preceding and current row)' for k in (5, 20))})"""
 

@@ -339,8 +339,9 @@ def periods(spark, d):
     )
 
 
-#: The periods by plain joins and windows, as every instant t of ``asof`` sees them.
-_SEEN = f"""{_ANCHOR}, {_CHG}, instant as (INSTANTS),
+def _seen(instants):
+    """The periods by plain joins and windows, as every instant t of ``instants`` sees them."""
+    return f"""{_ANCHOR}, {_CHG}, instant as ({instants}),
     cat as (select c::varchar as code, m as market, case when c = 3 then date '2024-01-10' end as valid_from,
         case when c = 4 then date '2024-01-20' end as valid_to, case when c = 2 then date '2024-01-12' end as renamed_on
         from range(5) t(c), (values ('sii'), ('otc')) u(m)),
@@ -384,7 +385,9 @@ _SEEN = f"""{_ANCHOR}, {_CHG}, instant as (INSTANTS),
     periods as (select t, stock_id, market, code as industry_code, basis, since as effective_from,
         case when next is not null then case when ceased and until < next then until else next end
             when ceased then until end as effective_to, public_at as available_at from seen)"""
-_PERIODS = _SEEN.replace("INSTANTS", "select timestamp '2024-01-22' as t")
+
+
+_PERIODS = _seen("select timestamp '2024-01-22' as t")
 
 
 @query(
@@ -410,10 +413,9 @@ def overlap_and_last(spark, d):
 
 
 #: Two reads at every probe: as each instant sees it, and what is known last shown from each period's own instant on.
-_ENDS = _SEEN.replace(
-    "INSTANTS",
+_ENDS = _seen(
     """select distinct available_at + to_seconds(x) as t from cv, (select unnest([-1, 0]) as x)
-        union select timestamp '2024-01-10 12:00:00' union select timestamp '2100-01-01'""",
+        union select timestamp '2024-01-10 12:00:00' union select timestamp '2100-01-01'"""
 )
 
 
