@@ -247,6 +247,46 @@ def test_language_identification(spark, docs, empty):
     assert {(r.lang_pred, r.score) for r in unknown} == {("und", 0.0)}
 
 
+def test_predictions_equal_brute_force(spark):
+    """Prototypes, predictions and scores of every row by the definition, one n-gram after another."""
+    r, space = random.Random(21), language_id.ProfileSpace(dimensions=128)
+    sounds = {"aa": ["ka", "lo", "mi", "na"], "bb": ["stre", "ich", "ung", "ö"], "cc": ["вод", "ах", "ет"]}
+    rows = []
+    for k in range(60):
+        lang = r.choice(list(sounds))
+        text = " ".join("".join(r.choices(sounds[lang], k=r.randint(1, 3))) for _ in range(r.randint(1, 12)))
+        rows.append((k, r.choice([text, text.upper(), f"1, {text}!"]), lang if r.random() < 0.8 else None))
+    rows += [(60, None, "aa"), (61, "12 34", "bb"), (62, "a", "cc"), (63, "", None), (None, "kalo mina", "aa"), (5, "kalo", "aa")]
+    rng = np.random.default_rng(space.seed)
+    letters = (rng.integers(0, 2, (language_id.SLOTS + 1, 128), np.int8) * 2 - 1).astype(int)
+
+    def bundle(text):
+        slots = [ord(c) % language_id.SLOTS + 1 if c.isalpha() else 0 for c in f" {(text or '').lower()} "]
+        slots = [x for i, x in enumerate(slots) if x or i == 0 or slots[i - 1]]
+        out = np.zeros(128, int)
+        for a, b, c in zip(slots, slots[1:], slots[2:]) if any(slots) else ():
+            out += np.roll(letters[a], 2) * np.roll(letters[b], 1) * letters[c]
+        return out, any(slots)
+
+    learnt = {}
+    for doc, text, lang in rows:
+        v, found = bundle(text)
+        if doc is not None and zlib.crc32(str(doc).encode()) % 3 != 1 and lang and text is not None and found and v.any():
+            learnt[lang] = learnt.get(lang, 0) + np.rint(v * (1000 / np.linalg.norm(v)))
+    want = []
+    for doc, text, _ in rows:
+        v, found = bundle(text)
+        scores = {k: float(v @ p / np.linalg.norm(v) / np.linalg.norm(p)) if v.any() else 0.0 for k, p in learnt.items()}
+        best = max(sorted(scores), key=lambda k: scores[k])
+        held = doc is not None and zlib.crc32(str(doc).encode()) % 3 == 1
+        want.append((doc, held, best if found else "und", max(scores[best], 0.0) if found else 0.0))
+    table = spark.createDataFrame(rows, "doc_id bigint, text string, lang string").repartition(4)
+    got = [(x.doc_id, x.held_out, x.lang_pred, x.score) for x in language_id.identify(table, space).collect()]
+    order = lambda x: (str(x[0]), x[2], round(x[3], 4))
+    for a, b in zip(sorted(got, key=order), sorted(want, key=order), strict=True):
+        assert a[:3] == b[:3] and abs(a[3] - b[3]) < 1e-5
+
+
 def test_equal_cosines_take_the_first_language(spark):
     text = prose(1, 40)
     table = spark.createDataFrame(

@@ -95,8 +95,8 @@ def format_conversations(conversations: DataFrame) -> DataFrame:
 
     Turns are ordered by turn, then role and text, so ties and repeated rows have a fixed order (all
     are kept). Null texts and roles are empty; a null turn comes first; rows with a null conv_id make one conversation.
-    Other columns are not read. Texts are escaped before the shuffle, turn by turn; a conversation is the unit of
-    output and is gathered once. ``round_trip`` compares all recovered turns with the source.
+    Other columns are not read; an empty table gives an empty table. Texts are escaped before the shuffle, turn by turn; a
+    conversation is the unit of output and is gathered once. ``round_trip`` compares all recovered turns with the source.
     """
     role, text = F.coalesce("role", F.lit("")), F.coalesce("text", F.lit(""))
     rows = conversations.select("conv_id", "turn", role.alias("role"), text.alias("text"))

@@ -96,7 +96,8 @@ def fit(
 
     At most about ``space.fit_rows`` rows are read, chosen by the hash of their id. Texts' vectors are scaled to
     length 1000 and rounded, so sums are whole numbers and the same on every run; only one vector
-    per language reaches the driver.
+    per language reaches the driver, and more than ``space.max_languages`` languages are an error. Repeated rows count
+    each; rows with a null text or language, texts without letters and an empty table teach nothing.
     """
     space = space or ProfileSpace()
     rows = sample_rows(
@@ -145,7 +146,8 @@ def predict(
     """(id, lang_pred, score): the nearest prototype and its cosine, at least 0.
 
     ``und`` with score 0 for null texts, texts without letters, and where nothing was learnt. Of equal
-    cosines the first language in alphabetical order wins. Only the text is used; whole texts count.
+    cosines the first language in alphabetical order wins. Only the text is used; whole texts count. Repeated rows and
+    ids are judged one by one and alike; other columns are not read; an empty table gives an empty table.
     """
     space, (langs, prototypes) = space or ProfileSpace(), model
 
@@ -174,6 +176,8 @@ def held_out(id_col: str = "doc_id"):
 
 
 def identify(docs: DataFrame, space: ProfileSpace | None = None) -> DataFrame:
-    """doc_id, held_out, lang_pred and score of every row, learnt from the rows that aren't held out."""
+    """doc_id, held_out, lang_pred and score of every row, learnt from the rows that aren't held out.
+
+    A row with a null id is judged, isn't held out, and teaches nothing. See ``fit`` and ``predict`` for other odd rows."""
     model = fit(docs.where(id_bucket(F.col("doc_id")) != 1), space)
     return predict(docs, model, space).withColumn("held_out", held_out())

@@ -193,7 +193,8 @@ def decode(ids: Column, model: PieceModel | None = None) -> Column:
 def encode_documents(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", model: PieceModel | None = None
 ) -> DataFrame:
-    """(id, ids, n_tokens, round_trip) of every row; other columns are not read. Nothing is shuffled."""
+    """(id, ids, n_tokens, round_trip) of every row; other columns are not read. Nothing is shuffled. Rows with a null id
+    are encoded like others, repeated rows and ids each; an empty table gives an empty table."""
     return docs.select(F.col(id_col), encode(F.col(text_col), model).alias("e")).select(
         id_col, "e.ids", "e.n_tokens", "e.round_trip"
     )
