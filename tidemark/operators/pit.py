@@ -10,7 +10,7 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Callable, Sequence
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -216,29 +216,31 @@ def with_lineage(df: DataFrame, series: Sequence[str], date: str) -> DataFrame:
     comma-joined.
 
     Instants are written to the microsecond, without a fraction where there is none. One digest runs along each
-    series, so a row costs the same however long the series before it; only keys and instants go through it.
+    series, so a row costs the same however long the series before it; rows keep their columns on the way, so there is one
+    exchange, by the series.
     """
     keys = [*series, date]
     micros = F.date_format("recorded_at", "SSSSSS")
     fraction = F.when(micros != "000000", F.concat(F.lit("."), micros)).otherwise("")
     seconds = F.date_format("recorded_at", "yyyy-MM-dd'T'HH:mm:ss")
     item = F.concat(F.date_format(date, "yyyy-MM-dd"), F.lit("@"), seconds, fraction, F.lit("+00:00"))
-    narrow = df.select(*keys, item.alias("__item"))
+    rows = df.select(*keys, *[c for c in df.columns if c not in keys], item.alias("__item"))
     found = T.StructType(
-        [narrow.schema[k] for k in keys]
+        [f for f in rows.schema.fields if f.name != "__item"]
         + [T.StructField("input_count", T.LongType()), T.StructField("input_fingerprint", T.StringType())]
     )
 
-    def along(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values(date, kind="stable")
+    def along(group: pa.Table) -> pa.Table:
+        group = group.sort_by(date)
         digest, prints = hashlib.sha256(), []
-        for i, text in enumerate(group["__item"]):
+        for i, text in enumerate(group["__item"].to_pylist()):
             digest.update(f"{',' if i else ''}{text}".encode())
             prints.append(digest.hexdigest())
-        return group[keys].assign(input_count=range(1, len(group) + 1), input_fingerprint=prints)
+        counts = pa.array(range(1, len(group) + 1), pa.int64())
+        out = group.drop_columns(["__item"]).append_column("input_count", counts)
+        return out.append_column("input_fingerprint", pa.array(prints, pa.string()))
 
-    prints = narrow.groupBy(*series).applyInPandas(along, found)
-    return df.join(prints, keys)
+    return rows.groupBy(*series).applyInArrow(along, found)
 
 
 def single_source(df: DataFrame, stocks: DataFrame | None = None, several: str = "refuse") -> DataFrame:
