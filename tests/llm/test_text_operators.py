@@ -85,6 +85,37 @@ def test_quality_bands_reject_by_each_measure(spark):
     assert kept == {i for i, x in got.items() if x.kept}
     again = {x.doc_id: x.reason for x in quality.annotate(table.repartition(11), rules=rules).collect()}
     assert again == {i: x.reason for i, x in got.items()}
+    assert again == plain_verdicts([x.asDict() for x in got.values()], rules)
+
+    bands = quality.bands_of(table, rules=rules)
+    few = table.where("doc_id % 7 = 0 or doc_id >= 2000")
+    alone = {x.doc_id: x.reason for x in quality.annotate(few, rules=rules, bands=bands).collect()}
+    assert alone == {i: again[i] for i in alone} and len(alone) < 100
+    assert {x.doc_id for x in quality.keep_good(few, rules=rules, bands=bands).collect()} == {i for i, x in alone.items() if not x}
+
+
+def plain_verdicts(rows, rules):
+    """Reasons by the definition, from the measures: quartiles of each group, moved out; the first group with texts enough."""
+    groups = {}
+    for x in rows:
+        if not x["base_failed"]:
+            for key in {(x["script"], x["lang"]), (x["script"], None)}:
+                groups.setdefault(key, []).append(x)
+    bands = {}
+    for key, members in groups.items():
+        if len(members) >= rules.min_texts:
+            bands[key] = own = []
+            for m in quality.MEASURES:
+                values = [np.floor(x[m] * 1000 + 0.5) / 1000 for x in members if x[m] is not None]
+                fence, (low, high) = rules.fences[m], np.percentile(values, [25, 75])
+                reach = max(rules.reach * (high - low), fence.least)
+                own.append((low - reach if fence.below else -np.inf, high + reach if fence.above else np.inf))
+    out = {}
+    for x in rows:
+        own = bands.get((x["script"], x["lang"])) or bands.get((x["script"], None)) or rules.wide[x["script"]]
+        bad = [m for m, (a, z) in zip(quality.MEASURES, own) if x[m] is not None and not a <= x[m] <= z]
+        out[x["doc_id"]] = "base" if x["base_failed"] else ",".join(bad) or None
+    return out
 
 
 def test_stretch_entropy():

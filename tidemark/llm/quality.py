@@ -279,16 +279,37 @@ def fit_bands(measured: DataFrame, language: str | None, rules: FertilityRules |
     return enough.select("band_script", "band_language", low.alias("low"), high.alias("high"))
 
 
-def judged(docs: DataFrame, keep: list[str], text_col: str, language_col: str, rules: FertilityRules) -> DataFrame:
+def _measured(docs: DataFrame, keep: list[str], text_col: str, language: str | None, rules: FertilityRules) -> DataFrame:
+    extra = [F.col(language).cast("string").alias("__language")] if language else []
+    measured = docs.select(*keep, *extra, measures(F.col(text_col), rules).alias("__quality"))
+    return written(measured, "quality-measures")
+
+
+def bands_of(
+    docs: DataFrame, text_col: str = "text", rules: FertilityRules | None = None, language_col: str = "lang"
+) -> DataFrame:
+    """The bands that the texts of ``docs`` fit, for ``annotate`` and ``keep_good`` to judge other tables by."""
+    rules, language = rules or FertilityRules(), language_col if language_col in docs.columns else None
+    measured = _measured(docs, [], text_col, language, rules)
+    return written(fit_bands(measured, "__language" if language else None, rules), "quality-bands")
+
+
+def judged(
+    docs: DataFrame,
+    keep: list[str],
+    text_col: str,
+    language_col: str,
+    rules: FertilityRules,
+    bands: DataFrame | None = None,
+) -> DataFrame:
     """The columns ``keep`` of ``docs``, the struct ``__quality`` and the string ``__reason`` (null: kept).
 
-    Measures are taken once and written to the shared folder; bands are fitted on them and joined back.
+    Measures are taken once and written to the shared folder; ``bands``, or those fitted on the measures, are joined back.
     """
     language = language_col if language_col in docs.columns else None
-    extra = [F.col(language).cast("string").alias("__language")] if language else []
-    measured = docs.select(*keep, *extra, measures(F.col(text_col), rules).alias("__quality"))
-    measured = written(measured, "quality-measures")
-    bands = written(fit_bands(measured, "__language" if language else None, rules), "quality-bands")
+    measured = _measured(docs, keep, text_col, language, rules)
+    if bands is None:
+        bands = written(fit_bands(measured, "__language" if language else None, rules), "quality-bands")
     small = (lambda df: F.broadcast(df)) if bands.count() <= BROADCAST_BANDS else (lambda df: df)
     script = F.col("__quality.script") == F.col("s_script")
     rows = measured.join(
@@ -316,10 +337,17 @@ def judged(docs: DataFrame, keep: list[str], text_col: str, language_col: str, r
 
 
 def annotate(
-    docs: DataFrame, text_col: str = "text", rules: FertilityRules | None = None, language_col: str = "lang"
+    docs: DataFrame,
+    text_col: str = "text",
+    rules: FertilityRules | None = None,
+    language_col: str = "lang",
+    bands: DataFrame | None = None,
 ) -> DataFrame:
     """Every row of ``docs`` without its text, with its counts, measures, ``reason`` and ``kept``.
 
+    Texts are judged by ``bands`` (see ``bands_of``), so that a verdict doesn't depend on the other rows; without them by the
+    bands that ``docs`` itself fits.
+
     ``reason`` is null for kept rows, ``base``, or all measures that are out of their band, joined by commas.
     Rows without a language, and all rows if there is no ``language_col``, are judged by their script. Repeated rows and
     null ids are rows like others; columns of ``docs`` with a measure's name are left out in favour of the
@@ -327,14 +355,18 @@ def annotate(
     """
     names = [*NAMES, "reason", "kept"]
     keep = [c for c in docs.columns if c != text_col and c not in names]
-    rows = judged(docs, keep, text_col, language_col, rules or FertilityRules())
+    rows = judged(docs, keep, text_col, language_col, rules or FertilityRules(), bands)
     found = [F.col(f"__quality.{n}").alias(n) for n in NAMES]
     return rows.select(*keep, *found, F.col("__reason").alias("reason"), F.col("__reason").isNull().alias("kept"))
 
 
 def keep_good(
-    docs: DataFrame, text_col: str = "text", rules: FertilityRules | None = None, language_col: str = "lang"
+    docs: DataFrame,
+    text_col: str = "text",
+    rules: FertilityRules | None = None,
+    language_col: str = "lang",
+    bands: DataFrame | None = None,
 ) -> DataFrame:
-    """The rows of ``docs`` that pass, with all their columns and nothing else; odd rows as in ``annotate``."""
-    rows = judged(docs, docs.columns, text_col, language_col, rules or FertilityRules())
+    """The rows of ``docs`` that pass, with all their columns and nothing else; bands and odd rows as in ``annotate``."""
+    rows = judged(docs, docs.columns, text_col, language_col, rules or FertilityRules(), bands)
     return rows.where(F.col("__reason").isNull()).select(*docs.columns)

@@ -166,7 +166,8 @@ def write_tokens(
 
     Rows with equal ids stay next to each other, ordered by text; null ids come first. Other columns
     are not read. An empty table writes an empty store. A range never holds more than its share of
-    ids, whatever the sizes of groups in other columns.
+    ids, whatever the sizes of groups in other columns; rows that share one id (or have none) are one range, since
+    their order by text is part of the store, so an id that very many rows share is one task's work.
     """
     tokenizer, fmt = tokenizer or Tokenizer(), fmt or TokenFormat()
     schema = pa.schema(
