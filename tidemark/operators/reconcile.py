@@ -210,7 +210,8 @@ def indicator_classes(
     for metric, length in lengths.items():
         n = F.when(F.col("metric") == metric, length).otherwise(n)
     t = transfers.select("stock_id").distinct().withColumn("__t", F.lit(True))
-    j = differences.join(i, [*series, date]).join(t, "stock_id", "left").join(only, "stock_id", "left").withColumn("__n", n)
+    j = differences.join(i, [*series, date]).join(t, "stock_id", "left").join(only, "stock_id", "left")
+    j = j.withColumn("__n", n)
     touches = lambda c: F.col(c).isNotNull() & (F.col("__n").isNull() | (F.col("__i") - F.col(c) < F.col("__n")))
     # The classes of differences, in the order they are tried.
     kind = F.when(F.col("__t"), "market_transfer").when(touches("__d"), "dropped_no_trade_days").when(
@@ -273,7 +274,8 @@ class Sessions:
     MOST = 200_000
 
     def __init__(self, calendar: DataFrame):
-        days = [r[0] for r in calendar.select("trade_date").where("trade_date is not null").distinct().limit(self.MOST + 1).collect()]
+        known = calendar.select("trade_date").where("trade_date is not null").distinct()
+        days = [r[0] for r in known.limit(self.MOST + 1).collect()]
         if len(days) > self.MOST:
             raise ValueError("a calendar has a row a day")
         self.first, numbers = min(days, default=None), sorted(d.toordinal() for d in days)

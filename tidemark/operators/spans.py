@@ -11,6 +11,7 @@ from tidemark.functions.instants import announcement_next_day, local_instant
 from tidemark.operators.pit import interval_counts, with_available_at
 
 KEY = ("stock_id", "market")
+SPAN = (*KEY, "listed_on", "delisted_on")
 
 
 def pair_events(listed: DataFrame, delisted: DataFrame) -> DataFrame:
@@ -271,7 +272,8 @@ def category_views(
     )
     views = own.groupBy(*bare.columns).agg(F.collect_set(F.when(inside, F.col("available_at"))).alias("__own"))
     fixed = F.array(early, categories_public, local_instant(F.col("start")), local_instant(F.col("end")))
-    instants = F.array_sort(F.array_distinct(F.array_compact(F.concat("__own", fixed, F.coalesce("__begins", F.array().cast("array<timestamp_ntz>"))))))
+    begins_in = F.coalesce("__begins", F.array().cast("array<timestamp_ntz>"))
+    instants = F.array_sort(F.array_distinct(F.array_compact(F.concat("__own", fixed, begins_in))))
     placed = views.join(begins, "market", "left").select(*bare.columns, instants.alias("x"))
     pairs = F.arrays_zip(F.col("x").alias("a"), F.slice("x", 2, 1 << 30).alias("z"))
     s = placed.select(*bare.columns, F.explode(pairs).alias("p")).select(
@@ -285,7 +287,9 @@ def category_views(
     )
 
 
-def ends_audit(views: DataFrame, public: DataFrame, categories: DataFrame, categories_public: Column, probes: DataFrame) -> DataFrame:
+def ends_audit(
+    views: DataFrame, public: DataFrame, categories: DataFrame, categories_public: Column, probes: DataFrame
+) -> DataFrame:
     """(probe, visible, late, ends_not_yet_public) of a read of category periods at every probe instant.
 
     ``views`` is the read under test, with seen_from and seen_until. ``late``: periods available only after the probe.
@@ -298,7 +302,8 @@ def ends_audit(views: DataFrame, public: DataFrame, categories: DataFrame, categ
     ).agg(F.min("available_at").alias("__public"))
     closed = categories.where("valid_to is not null").select(F.col("valid_to").alias("effective_to")).distinct()
     closed = closed.withColumn("__closed", categories_public)
-    v = views.join(begun, ["stock_id", "market", "effective_to"], "left").join(F.broadcast(closed), "effective_to", "left")
+    v = views.join(begun, ["stock_id", "market", "effective_to"], "left")
+    v = v.join(F.broadcast(closed), "effective_to", "left")
     right = F.least(local_instant(F.col("effective_to")), "__public", "__closed")
     kinds = F.array(
         F.struct(F.lit("visible").alias("kind"), F.col("seen_until").alias("until")),
@@ -352,7 +357,7 @@ def _periods(
         F.lit("change").alias("basis"),
         F.col("p.available_at").alias("available_at"),
     )
-    held = anchored.select(*[F.col(c).alias(f"a_{c}") for c in ("stock_id", "market", "listed_on", "delisted_on")], "anchor_code")
+    held = anchored.select(*[F.col(c).alias(f"a_{c}") for c in SPAN], "anchor_code")
     of_span = [
         F.col("stock_id") == F.col("a_stock_id"), F.col("market") == F.col("a_market"),
         F.col("start").eqNullSafe(F.col("a_listed_on")), F.col("end").eqNullSafe(F.col("a_delisted_on")),
@@ -444,9 +449,6 @@ def last_known_category(periods: DataFrame) -> DataFrame:
     return stats.where(~F.col("current")).drop("current")
 
 
-SPAN = ("stock_id", "market", "listed_on", "delisted_on")
-
-
 def chain_issues(spans: DataFrame, versions: DataFrame, anchored: DataFrame, categories: DataFrame) -> DataFrame:
     """(span columns, effective_date, issue) where the latest chain of a span doesn't hold together.
 
@@ -524,7 +526,8 @@ def quote_agreement(quotes: DataFrame, periods: DataFrame, lagging: DataFrame) -
     late = lagging.select(F.col("stock_id").alias("__late"), "since", "until").distinct()
     shown = quotes.join(p, hit, "left").select(quotes["*"], "__code")
     slow = (shown.stock_id == late["__late"]) & contains(shown.trade_date, "since", "until")
-    same, differing = F.col("__code") == F.col("industry_code"), shown.join(late, slow, "left_semi").where("__code <> industry_code")
+    same = F.col("__code") == F.col("industry_code")
+    differing = shown.join(late, slow, "left_semi").where("__code <> industry_code")
     known = differing.groupBy("market", "trade_date").agg(F.count("*").alias("known_lag"))
     counts = shown.groupBy("market", "trade_date").agg(
         F.count_if(same).alias("agree"),

@@ -70,7 +70,8 @@ def quarter_values(inputs: DataFrame) -> DataFrame:
         v = F.when(earned & (F.col("__b") == kind), F.col("value"))
         return F.when(F.min(v) == F.max(v), F.max(v))
 
-    closing = F.col("period_start").isNull() & (F.col("period_end") == quarter_end(F.col("report_year"), F.col("report_quarter")))
+    last_day = quarter_end(F.col("report_year"), F.col("report_quarter"))
+    closing = F.col("period_start").isNull() & (F.col("period_end") == last_day)
     owned = (F.col("statement") == "balance_sheet") & (F.col("account_code") == equity)
     eq = F.when(owned & closing, F.col("value"))
     cols = [F.when(F.min(eq) == F.max(eq), F.max(eq)).alias("equity")]
