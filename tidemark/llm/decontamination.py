@@ -50,7 +50,6 @@ ENDS = frozenset(".!?:;\"”»")
 _NUMBER = re.compile(r"[-+]?[$€£]?\d[\d.,:/]*(?:st|nd|rd|th|%|[a-zµ]{1,3})?\Z")
 #: A capitalised word with small letters; parts may be joined (Anne-Marie, O'Brien) and have capitals inside (McDonald).
 _NAMED = re.compile(r"(?=.*[^\W\d_A-ZÀ-ÖØ-Þ])[^\W\d_]+(?:['’-][^\W\d_]+)*\Z")
-_INITIAL = re.compile(r"[^\W\d_a-zß-öø-ÿ]\.\Z")
 _EDGES = re.compile(r"\A[^\w$€£%°+-]+|[^\w%°]+\Z")
 #: Template tokens kept in a task; beyond it the cache starts anew (results don't change).
 CACHE_WORDS = 150_000
@@ -93,24 +92,27 @@ class Templates:
     def attribute(word: str) -> tuple[int, int, bool, bool, int, bool]:
         """(hash of the token, placeholder kind or 0, starts like a name, ends a sentence, hash of the word itself, is
         a common word)."""
+        alpha = True
         if word.isalpha():
             core, ends = word, False
         elif word[-1] in ".,;:!?" and word[:-1].isalpha():
             core, ends = word[:-1], word[-1] in ".!?:;"
         else:
-            core, ends = _EDGES.sub("", word), word[-1] in ENDS
+            core, ends, alpha = _EDGES.sub("", word), word[-1] in ENDS, False
         low = core.lower()
         own = _digest((low or word).encode())
         kind = _KINDS.get(low, 0)
-        if not kind and not low.isalpha():
+        if not (kind or alpha):
             counted = "-" in low and all(part in NUMBER_WORDS for part in low.split("-"))
             kind = 1 if counted or _NUMBER.match(low) else 0
         if kind:
             return NUMBER_HASH if kind == 1 else UNIT_HASH, kind, False, ends, own, low in COMMON
-        if _INITIAL.match(word):
-            return own, 0, word[0].isupper(), False, own, False
-        named = core != low and len(core) > 1 and core[0].isupper()
-        return own, 0, named and (core[1:].islower() and core.isalpha() or bool(_NAMED.match(core))), ends, own, low in COMMON
+        if core == low or not core[0].isupper():
+            return own, 0, False, ends, own, low in COMMON
+        if len(core) == 1:
+            initial = len(word) == 2 and word[1] == "."
+            return own, 0, initial, ends and not initial, own, low in COMMON and not initial
+        return own, 0, alpha and core[1:].islower() or bool(_NAMED.match(core)), ends, own, low in COMMON
 
     def learn(self, words: set[str]) -> None:
         new = words.difference(self.index)
