@@ -7,6 +7,8 @@ unreadable value from a missing one.
 from __future__ import annotations
 
 import html as html_module
+import html.entities
+import re
 from collections.abc import Iterable, Iterator, Mapping
 from itertools import chain
 
@@ -129,22 +131,38 @@ def _unescaped(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         yield pa.array([None if t is None else html_module.unescape(t) for t in batch.to_pylist()], pa.string())
 
 
+_TERMINATED = re.compile("&(?:#[0-9]+|#[xX][0-9a-fA-F]+|[A-Za-z][A-Za-z0-9]*);")
+
+
+def _reference(match: re.Match[str]) -> str:
+    text = match[0]
+    return html_module.unescape(text) if text[1] == "#" or text[1:] in html_module.entities.html5 else text
+
+
+def _unescaped_terminated(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    for batch in batches:
+        yield pa.array([None if t is None else _TERMINATED.sub(_reference, t) for t in batch.to_pylist()], pa.string())
+
+
 def stripped(text: Column) -> Column:
     """A text without white space, of whatever script, at its ends."""
     return F.regexp_replace(text, r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$", "")
 
 
-def untagged(html: Column) -> Column:
+def untagged(html: Column, terminated: bool = False) -> Column:
     """An HTML fragment with line breaks and paragraph ends as newlines, without tags, and with all named and numeric
-    character references decoded (only texts with an ampersand go through Python)."""
+    character references decoded (only texts with an ampersand go through Python).
+
+    Like browsers, this also reads some references that lack their semicolon; with ``terminated`` these stay as they
+    are, such as the rest of a reference that a text was cut in."""
     out = F.regexp_replace(F.regexp_replace(html, r"(?i)<br\s*/?>|</p>", "\n"), "<[^>]+>", "")
-    decoded = F.arrow_udf(_unescaped, "string")(F.when(F.contains(out, F.lit("&")), out))
+    decoded = F.arrow_udf(_unescaped_terminated if terminated else _unescaped, "string")(F.when(F.contains(out, F.lit("&")), out))
     return F.coalesce(decoded, out)
 
 
-def html_text(html: Column) -> Column:
+def html_text(html: Column, terminated: bool = False) -> Column:
     """Text of an HTML fragment, without white space at its ends."""
-    return stripped(untagged(html))
+    return stripped(untagged(html, terminated))
 
 
 #: Fixed value: texts up to this length that are no number stand for "no value".
