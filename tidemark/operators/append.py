@@ -18,9 +18,13 @@ def _differs(values: Sequence[str], old: str = "__old") -> Column:
 
 
 def with_latest(incoming: DataFrame, stored: DataFrame, keys: Sequence[str], values: Sequence[str]) -> DataFrame:
-    """Incoming rows beside the stored latest: ``__old`` (values), ``is_new`` and ``is_changed``."""
-    old = latest_per_key(stored.select(*keys, "recorded_at", *values), keys)
-    old = old.select(*[F.col(k).alias(f"__{k}") for k in keys], F.struct(*values).alias("__old"))
+    """Incoming rows beside the stored latest: ``__old`` (values), ``is_new`` and ``is_changed``. Of stored rows that
+    were recorded at one latest instant that with the smallest values counts, so the judgement doesn't depend on the
+    order that tasks end in."""
+    age = (F.lit("9999-12-31").cast("timestamp_ntz") - F.col("recorded_at")).alias("__age")
+    newest = F.min(F.when(F.col("recorded_at").isNotNull(), F.struct(age, *values))).alias("__row")
+    old = stored.groupBy(*[F.col(k).alias(f"__{k}") for k in keys]).agg(newest)
+    old = old.select(*[f"__{k}" for k in keys], F.struct(*[F.col(f"__row.{v}").alias(v) for v in values]).alias("__old"))
     same = [incoming[k].eqNullSafe(F.col(f"__{k}")) for k in keys]
     joined = incoming.join(old, same, "left").drop(*[f"__{k}" for k in keys])
     return joined.withColumn("is_new", F.col("__old").isNull()).withColumn(
