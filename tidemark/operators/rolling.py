@@ -1,7 +1,7 @@
 """The technical panel of every date as the market saw it at that date's own release instant.
 
 A correction of an earlier date becomes public between two release instants; the recurrences must then run anew from
-the corrected date on, and from there only. So each series is scanned once, in order of its dates: the values visible
+the corrected date on. So each series is scanned once, in order of its dates: the values visible
 so far are held in arrays beside the state of every recurrence, what became public since the last date is written into
 them, and the states are brought up to date from the earliest date written. A date costs as many steps as the
 corrections that it sees reach back. One of the states is the digest of what was read, so every row says what its own
@@ -14,7 +14,7 @@ decimal places would be rounded to six in the moving averages.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -22,137 +22,161 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.operators.metrics import METRICS, NEUTRAL_RSV, SERIES, WINDOWS
+from tidemark.operators.metrics import METRICS, NEUTRAL_RSV, SERIES, WINDOWS, of_like_length, whole_series
+from tidemark.operators.sizes import clustered
 
 NAN = float("nan")
+ALL = slice(None)
+#: Places that all series of a chunk step again; of those before, only the series that have changed there do.
+NEAR = 4
+#: Versions of whole series that a task scans at once.
+ROWS_AT_ONCE = 100_000
 #: Parts of one that averages are summed in, as whole numbers.
 UNITS = {"close": 1_000_000, "volume": 1}
 
 
 class RunningMean:
-    """An exponential mean along a series, with its state after every place (decays across gaps)."""
+    """Exponential means along series, with their states after every place (decay across gaps)."""
 
-    def __init__(self, n: int, alpha: float, adjust: bool, min_periods: int):
+    def __init__(self, n: int, width: int, alpha: float, adjust: bool, min_periods: int):
         self.keep, self.alpha, self.adjust, self.least = 1 - alpha, alpha, adjust, min_periods
-        self.mean, self.weight, self.seen = [NAN] * (n + 1), [1.0] * (n + 1), [0] * (n + 1)
-
-    def step(self, i: int, value: float) -> float:
-        """Take the value of place ``i`` in; the mean after it, nan below the least number of values."""
-        mean, weight, seen = self.mean[i], self.weight[i], self.seen[i]
-        known = value == value
-        if mean == mean:
-            weight *= self.keep
-            if known:
-                new = 1.0 if self.adjust else self.alpha
-                if mean != value:
-                    mean = (weight * mean + new * value) / (weight + new)
-                weight = weight + new if self.adjust else 1.0
-        elif known:
-            mean, weight = value, 1.0
-        seen += known
-        self.mean[i + 1], self.weight[i + 1], self.seen[i + 1] = mean, weight, seen
-        return mean if seen >= self.least else NAN
+        self.mean, self.weight = np.full((n + 1, width), NAN), np.ones((n + 1, width))
+        self.seen = np.zeros((n + 1, width), np.int32)
+
+    def step(self, i: int, value: np.ndarray, cols: slice | np.ndarray = ALL) -> np.ndarray:
+        """Take the values of place ``i`` of the series ``cols`` in; the means after it, nan below the least number of values."""
+        mean, known = self.mean[i, cols], value == value
+        started = mean == mean
+        weight = np.where(started, self.weight[i, cols] * self.keep, 1.0)
+        new = 1.0 if self.adjust else self.alpha
+        moved = np.where(mean == value, mean, (weight * mean + new * value) / (weight + new))
+        self.mean[i + 1, cols] = np.where(known, np.where(started, moved, value), mean)
+        self.weight[i + 1, cols] = np.where(known & started, weight + new if self.adjust else 1.0, weight)
+        self.seen[i + 1, cols] = self.seen[i, cols] + known
+        return np.where(self.seen[i + 1, cols] >= self.least, self.mean[i + 1, cols], NAN)
 
 
 class Scan:
-    """The visible values of one series of ``n`` dates and what is computed along them."""
+    """The visible values of ``width`` series of up to ``n`` dates and what is computed along them, a row a place and a
+    column a series."""
 
-    def __init__(self, n: int):
-        self.high, self.low, self.close, self.volume = ([NAN] * n for _ in range(4))
-        self.recorded = [-(1 << 63)] * n
-        mean = lambda alpha, adjust=False, least=1: RunningMean(n, alpha, adjust, least)
+    def __init__(self, n: int, width: int):
+        self.high, self.low, self.close, self.volume = (np.full((n, width), NAN) for _ in range(4))
+        mean = lambda alpha, adjust=False, least=1: RunningMean(n, width, alpha, adjust, least)
         self.k, self.d, self.fast, self.slow, self.dea = (mean(a) for a in (1 / 3, 1 / 3, 2 / 13, 2 / 27, 2 / 10))
         self.rsi = [(f"rsi{p}", mean(1 / p, True, p), mean(1 / p, True, p)) for p in (6, 12)]
         #: Running sums, as whole numbers, and counts of the values that are there.
-        self.sums, self.counts = {c: [0] * (n + 1) for c in UNITS}, {c: [0] * (n + 1) for c in UNITS}
-        self.last: dict[str, float] = {}
-        #: The digest of the items of the visible places up to each place, and their number.
-        self.items: list[bytes] = [b""] * n
-        self.digests, self.inputs = [hashlib.sha256()] * (n + 1), [0] * (n + 1)
-
-    def put(self, i: int, recorded: int, values: Sequence[float], item: bytes) -> bool:
-        """Write a version of place ``i`` unless a later one is there."""
-        if recorded < self.recorded[i]:
-            return False
-        self.recorded[i], self.items[i] = recorded, item
-        self.high[i], self.low[i], self.close[i], self.volume[i] = values
-        return True
-
-    def step(self, i: int) -> None:
-        """Bring the states of place ``i`` up to date, those before it being so."""
-        close = self.close[i]
-        self.digests[i + 1], self.inputs[i + 1] = self.digests[i], self.inputs[i]
-        if self.items[i]:
-            digest = self.digests[i + 1] = self.digests[i].copy()
-            digest.update(b"," + self.items[i] if self.inputs[i] else self.items[i])
-            self.inputs[i + 1] += 1
-        for c, value in (("close", close), ("volume", self.volume[i])):
+        self.sums = {c: np.zeros((n + 1, width), np.int64) for c in UNITS}
+        self.counts = {c: np.zeros((n + 1, width), np.int32) for c in UNITS}
+        self.last: dict[str, np.ndarray] = {}
+
+    def step(self, i: int, cols: slice | np.ndarray = ALL) -> None:
+        """Bring the states of place ``i`` of the series ``cols`` up to date, those before it being so."""
+        close = self.close[i, cols]
+        for c, value in (("close", close), ("volume", self.volume[i, cols])):
             known = value == value
-            self.sums[c][i + 1] = self.sums[c][i] + (round(value * UNITS[c]) if known else 0)
-            self.counts[c][i + 1] = self.counts[c][i] + known
-        rsv = NEUTRAL_RSV
-        if i >= 8 and close == close:
-            highs, lows = self.high[i - 8 : i + 1], self.low[i - 8 : i + 1]
-            total = sum(highs) + sum(lows)
-            if total == total and (high := max(highs)) > (low := min(lows)):
-                rsv = (close - low) / (high - low) * 100
-        k = self.k.step(i, rsv)
-        dif = self.fast.step(i, close) - self.slow.step(i, close)
-        dea = self.dea.step(i, dif)
-        self.last = {"k": k, "d": self.d.step(i, k), "macd_dif": dif, "macd_dea": dea, "macd_hist": dif - dea}
-        change = close - self.close[i - 1] if i else NAN
-        rise, fall = (max(change, 0.0), max(-change, 0.0)) if change == change else (NAN, NAN)
+            self.sums[c][i + 1, cols] = self.sums[c][i, cols] + np.rint(np.where(known, value, 0.0) * UNITS[c]).astype(np.int64)
+            self.counts[c][i + 1, cols] = self.counts[c][i, cols] + known
+        rsv = np.full(len(close), NEUTRAL_RSV)
+        if i >= 8:
+            high, low = self.high[i - 8 : i + 1, cols].max(0), self.low[i - 8 : i + 1, cols].min(0)
+            rsv = np.where((close == close) & (high > low), (close - low) / (high - low) * 100, NEUTRAL_RSV)
+        k = self.k.step(i, rsv, cols)
+        dif = self.fast.step(i, close, cols) - self.slow.step(i, close, cols)
+        dea = self.dea.step(i, dif, cols)
+        self.last = {"k": k, "d": self.d.step(i, k, cols), "macd_dif": dif, "macd_dea": dea, "macd_hist": dif - dea}
+        change = close - self.close[i - 1, cols] if i else np.full(len(close), NAN)
         for name, up, down in self.rsi:
-            gain, loss = up.step(i, rise), down.step(i, fall)
-            value = NAN
-            if gain == gain and loss == loss and (gain or loss):
-                value = 100 - 100 / (1 + gain / loss) if loss else 100.0
+            gain, loss = up.step(i, np.maximum(change, 0.0), cols), down.step(i, np.maximum(-change, 0.0), cols)
+            value = np.where(loss == 0, np.where(gain > 0, 100.0, NAN), 100 - 100 / (1 + gain / loss))
             self.last[name] = value
 
-    def mean_of_last(self, c: str, i: int, n: int) -> float:
-        if i + 1 < n or self.counts[c][i + 1] - self.counts[c][i + 1 - n] < n:
-            return NAN
-        return (self.sums[c][i + 1] - self.sums[c][i + 1 - n]) / UNITS[c] / n
+    def mean_of_last(self, c: str, i: int, n: int) -> np.ndarray:
+        if i + 1 < n:
+            return np.full(self.close.shape[1], NAN)
+        whole = self.counts[c][i + 1] - self.counts[c][i + 1 - n] == n
+        return np.where(whole, (self.sums[c][i + 1] - self.sums[c][i + 1 - n]) / UNITS[c] / n, NAN)
 
-    def row(self, i: int) -> list[float]:
-        """The panel of place ``i``, whose states are the last computed."""
+    def row(self, i: int) -> np.ndarray:
+        """The panels of place ``i``, whose states are the last computed: a row a series."""
         out = dict(self.last)
         for n in WINDOWS:
             out[f"ma{n}"], out[f"vma{n}"] = self.mean_of_last("close", i, n), self.mean_of_last("volume", i, n)
         middle = out["bb_middle"] = out["ma20"]
-        width = 2 * float(np.std(self.close[i - 19 : i + 1], ddof=1)) if middle == middle else NAN
+        width = 2 * np.std(self.close[i - 19 : i + 1], axis=0, ddof=1) if i >= 19 else np.full(len(middle), NAN)
         out["bb_upper"], out["bb_lower"] = middle + width, middle - width
-        return [out[m] for m in METRICS]
+        return np.column_stack([out[m] for m in METRICS])
+
+
+def read_digests(
+    places: int, moves: Sequence[tuple[int, int, int, int]], items: Sequence[bytes]
+) -> tuple[list[int], list[str]]:
+    """The number and the digest of what each of a series' dates has read. ``moves`` are the versions written, in order:
+    the date at which each is seen, its own date's place, its instant and its number in ``items``."""
+    digests, inputs = [hashlib.sha256()] * (places + 1), [0] * (places + 1)
+    held: list[bytes] = [b""] * places
+    counts, prints, at = [], [], 0
+    for i in range(places):
+        start = i
+        while at < len(moves) and moves[at][0] == i:
+            _, place, _, v = moves[at]
+            held[place], start, at = items[v], min(start, place), at + 1
+        for j in range(start, i + 1):
+            digest, count = digests[j], inputs[j]
+            if held[j]:
+                digest = digest.copy()
+                digest.update(b"," + held[j] if count else held[j])
+                count += 1
+            digests[j + 1], inputs[j + 1] = digest, count
+        counts.append(inputs[i + 1])
+        prints.append(digests[i + 1].hexdigest())
+    return counts, prints
 
 
 def scan_series(
-    dates: np.ndarray,
-    cutoffs: np.ndarray,
-    place: np.ndarray,
-    available: np.ndarray,
-    recorded: np.ndarray,
-    values: np.ndarray,
-    items: Sequence[bytes],
-) -> tuple[np.ndarray, list[int], list[str]]:
-    """The panel rows of a series, with the number and the digest of what each has read: ``dates`` with their ``cutoffs``,
-    and versions with their date's place, instants, values and item of the digest."""
-    order = np.lexsort((recorded, available)).tolist()
-    cutoffs, place, available, recorded, values = (x.tolist() for x in (cutoffs, place, available, recorded, values))
-    scan, out, at = Scan(len(dates)), np.empty((len(dates), len(METRICS))), 0
-    counts, prints = [], []
-    for i, cutoff in enumerate(cutoffs):
-        start = i
-        while at < len(order) and available[order[at]] <= cutoff:
-            v = order[at]
-            if scan.put(place[v], recorded[v], values[v], items[v]):
-                start = min(start, place[v])
-            at += 1
-        for j in range(start, i + 1):
-            scan.step(j)
-        out[i] = scan.row(i)
-        counts.append(scan.inputs[i + 1])
-        prints.append(scan.digests[i + 1].hexdigest())
-    return out, counts, prints
+    dates: Sequence[np.ndarray],
+    cutoffs: Sequence[np.ndarray],
+    place: Sequence[np.ndarray],
+    available: Sequence[np.ndarray],
+    recorded: Sequence[np.ndarray],
+    values: Sequence[np.ndarray],
+    items: Sequence[Sequence[bytes]],
+) -> list[tuple[np.ndarray, list[int], list[str]]]:
+    """The panel rows of each series, with the number and the digest of what each has read: their ``dates`` with their
+    ``cutoffs``, and versions with their date's place, instants, values and item of the digest.
+
+    All series step together. Stepping one from a place before its first changed one gives the same states again, so of
+    the last places all series step; a correction of an earlier one is followed in its own series up to these."""
+    width, longest = len(dates), max(map(len, dates))
+    scan = Scan(longest, width)
+    arrivals: list[list[tuple[int, int, np.ndarray]]] = [[] for _ in range(longest)]
+    marks = []
+    for s in range(width):
+        order = np.lexsort((recorded[s], available[s]))
+        seen = np.searchsorted(cutoffs[s], available[s][order], "left")
+        newest, moves = [-(1 << 63)] * len(dates[s]), []
+        where, when = place[s][order].tolist(), recorded[s][order].tolist()
+        for v, i, p, r in zip(order.tolist(), seen.tolist(), where, when):
+            if i < len(dates[s]) and r >= newest[p]:
+                newest[p] = r
+                moves.append((max(i, p), p, r, v))
+        moves.sort(key=lambda m: m[0])
+        for i, p, _, v in moves:
+            arrivals[i].append((p, s, values[s][v]))
+        marks.append(read_digests(len(dates[s]), moves, items[s]))
+    found = np.empty((longest, width, len(METRICS)))
+    with np.errstate(invalid="ignore", divide="ignore"):
+        for i in range(longest):
+            for p, s, (high, low, close, volume) in arrivals[i]:
+                scan.high[p, s], scan.low[p, s], scan.close[p, s], scan.volume[p, s] = high, low, close, volume
+            near = max(0, i - NEAR) if any(p < i for p, _, _ in arrivals[i]) else i
+            far = sorted((p, s) for p, s, _ in arrivals[i] if p < near)
+            for j in range(far[0][0] if far else near, near):
+                scan.step(j, np.unique([s for p, s in far if p <= j]))
+            for j in range(near, i + 1):
+                scan.step(j)
+            found[i] = scan.row(i)
+    return [(found[: len(dates[s]), s], *marks[s]) for s in range(width)]
 
 
 def input_items(days: np.ndarray, recorded: np.ndarray) -> list[bytes]:
@@ -163,13 +187,16 @@ def input_items(days: np.ndarray, recorded: np.ndarray) -> list[bytes]:
 
 
 def rolling_panel(
-    available: DataFrame, rule: Callable[[Column], Column], series: Sequence[str] = SERIES, date: str = "trade_date"
+    available: DataFrame,
+    rule: Callable[[Column], Column],
+    series: Sequence[str] = SERIES,
+    date: str = "trade_date",
 ) -> DataFrame:
     """The 22 metrics of every date from the versions public at its own release instant ``rule(date)``, with ``input_count``
     and ``input_fingerprint`` of the versions it read (E18: SHA-256 over their ``date@recorded``, comma-joined).
 
-    ``available`` has the series, the date, recorded_at, available_at, high, low, close and volume. One task scans
-    a series; only what it needs is shuffled.
+    ``available`` has the series, the date, recorded_at, available_at, high, low, close and volume. A task scans
+    some hundred series at once; only what it needs is shuffled.
     """
     micros = lambda c: F.unix_micros(F.col(c).cast("timestamp_ntz").cast("timestamp")) if isinstance(c, str) else c
     bars = [F.col(c).cast("double").alias(c) for c in ("high", "low", "close", "volume")]
@@ -183,17 +210,35 @@ def rolling_panel(
         + [T.StructField("input_count", T.LongType()), T.StructField("input_fingerprint", T.StringType())]
     )
 
-    def along(group: pd.DataFrame) -> pd.DataFrame:
-        days, first, place = np.unique(group[date].to_numpy(), return_index=True, return_inverse=True)
-        cutoffs = group["__cutoff"].to_numpy()[first]
-        values = group[["high", "low", "close", "volume"]].to_numpy(float)
-        recorded = group["__r"].to_numpy()
-        items = input_items(group[date].to_numpy(), recorded)
-        found, counts, prints = scan_series(days, cutoffs, place, group["__a"].to_numpy(), recorded, values, items)
-        out = pd.DataFrame(found, columns=list(METRICS)).assign(input_count=counts, input_fingerprint=prints)
-        out.insert(0, date, days)
+    def side_by_side(chunk: pd.DataFrame, begins: np.ndarray, ends: np.ndarray) -> pd.DataFrame:
+        """Some series of a chunk, which lie from ``begins`` to ``ends``."""
+        dates, given = [], []
+        for a, z in zip(begins, ends):
+            days, first, place = np.unique(chunk[date].to_numpy()[a:z], return_index=True, return_inverse=True)
+            recorded = chunk["__r"].to_numpy()[a:z]
+            dates.append(days)
+            given.append((
+                days,
+                chunk["__cutoff"].to_numpy()[a:z][first],
+                place,
+                chunk["__a"].to_numpy()[a:z],
+                recorded,
+                chunk[["high", "low", "close", "volume"]].to_numpy(float)[a:z],
+                input_items(chunk[date].to_numpy()[a:z], recorded),
+            ))
+        scanned = scan_series(*zip(*given))
+        out = pd.DataFrame(np.concatenate([x[0] for x in scanned]), columns=list(METRICS))
+        out = out.assign(input_count=sum((x[1] for x in scanned), []), input_fingerprint=sum((x[2] for x in scanned), []))
+        out.insert(0, date, np.concatenate(dates))
+        sizes = [len(d) for d in dates]
         for k, c in enumerate(series):
-            out.insert(k, c, group[c].iloc[0])
+            out.insert(k, c, np.repeat(chunk[c].to_numpy()[begins], sizes))
         return out
 
-    return rows.groupBy(*series).applyInPandas(along, schema)
+    def along(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for chunk, begins in whole_series(frames, series, ROWS_AT_ONCE):
+            ends = np.append(begins[1:], len(chunk))
+            for part in of_like_length(ends - begins):
+                yield side_by_side(chunk, begins[part], ends[part])
+
+    return clustered(rows, series).sortWithinPartitions(*series, date).mapInPandas(along, schema)
