@@ -117,6 +117,20 @@ def test_links_on_crafted_fingerprints(spark):
     assert got == want
 
 
+def test_variants_of_a_few_fingerprints_are_paired(spark, monkeypatch):
+    """Small groups are linked without centres, large ones through them."""
+    counts, centres = [], simhash._centres
+    monkeypatch.setattr(simhash, "_centres", lambda fps: (counts.append(fps.count()), centres(fps))[1])
+    small = [(g << 40) | (1 << b) for g in range(1, 9) for b in range(4)]
+    large = [(9 << 40) | (1 << b) for b in range(20)]
+    apart = [(10 << 40) | x for x in (0, 1, 2, 0b11110000, 0b11110001)]
+    for fps, most in ((small, 0), (large, 20), (apart, 0)):
+        links = simhash.fingerprint_links(spark.createDataFrame([(x,) for x in fps], "fp bigint"))
+        got = {x.node: x.root for x in connected_components(links).collect()}
+        assert got == plain_components([(a, b) for a in fps for b in fps if a > b and (a ^ b).bit_count() <= 2])
+        assert counts.pop() == most
+
+
 def test_components_of_a_chain_and_star(spark):
     edges = [(i + 1, i) for i in range(40)] + [(200 + i, 100) for i in range(30)]
     got = {x.node: x.root for x in connected_components(spark.createDataFrame(edges, "a bigint, b bigint")).collect()}

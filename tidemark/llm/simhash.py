@@ -5,7 +5,7 @@ less at least one segment differs by at most one bit. Every segment is indexed u
 one-wildcard variants (one bit left open); fingerprints that share a variant are candidates and
 are verified on all 64 bits.
 
-A variant shared by exactly two fingerprints gives its pair directly. A variant shared by more
+A variant shared by two to ``PAIRED`` fingerprints gives its pairs directly. A variant shared by more
 ("crowded") is never expanded into pairs: its members are linked exactly through *ball centres*.
 Two fingerprints are within two bits of each other if and only if some 64-bit value is within one
 bit of both, so all members of a centre are truly linked and a star from each member to the
@@ -25,6 +25,8 @@ from tidemark.llm.components import connected_components
 
 BITS, SEGMENTS, MAX_DISTANCE, SHINGLE, SEED = 64, 2, 2, 3, 42
 SEGMENT_BITS = BITS // SEGMENTS
+#: Fingerprints of a variant that are compared in pairs at most; this many make under half as many pairs each.
+PAIRED = 8
 #: Fingerprints that a task expands into 64 variants each.
 FINGERPRINTS_A_TASK = 16_000
 
@@ -93,8 +95,15 @@ def fingerprint_links(fps: DataFrame) -> DataFrame:
     shared = written(counted.where("n > 1"), "simhash-shared")
     near = F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= MAX_DISTANCE
     pairs = shared.where("n = 2").where(near).select("a", "b")
-    keys = shared.where("n > 2").select("key")
-    crowded = written(variants.join(listed(keys), "key", "left_semi").select("fp").distinct(), "simhash-crowded")
+    keys = shared.where("n > 2").select("key", "n")
+    members = written(variants.join(listed(keys), "key").select("key", "n", "fp"), "simhash-members")
+    few = members.where(F.col("n") <= PAIRED).groupBy("key").agg(F.collect_list("fp").alias("x"))
+    within = F.expr(
+        "filter(flatten(transform(x, p -> transform(x, q -> struct(p as a, q as b)))), "
+        f"y -> y.a > y.b and bit_count(y.a ^ y.b) <= {MAX_DISTANCE})"
+    )
+    pairs = pairs.unionByName(few.select(F.inline(within)))
+    crowded = written(members.where(F.col("n") > PAIRED).select("fp").distinct(), "simhash-crowded")
     centres = _centres(spread(crowded, FINGERPRINTS_A_TASK))
     least = centres.groupBy("centre").agg(F.min("fp").alias("b"), F.count("*").alias("n")).where("n > 1")
     stars = centres.join(least.select("centre", "b").hint("merge"), "centre").where("fp > b")
