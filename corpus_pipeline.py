@@ -33,9 +33,8 @@ def toxicity_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each component of near copies (five-word shingles, similarity 0.8), that with the smallest id.
 
-    This is not op9's deletion-variant SimHash, which isn't part of the pipeline: at a similarity of 0.8 about ten of 64 bits
-    differ, more than segments with one open bit can index. Candidates come from MinHash bands and are verified on
-    the whole shingle sets (``llm.near_copies``)."""
+    Candidates come from op9's operator (SimHash deletion variants, on the five-word sets) and, as about ten of 64 bits
+    differ at a similarity of 0.8, from MinHash bands; all are verified on the whole shingle sets (``llm.near_copies``)."""
     return near_copies.keep_representatives(docs)
 
 

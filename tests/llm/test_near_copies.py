@@ -5,6 +5,7 @@ import random
 from collections import Counter
 
 import pytest
+import xxhash
 
 import corpus_pipeline
 from tests.llm.test_group_operators import plain_components
@@ -48,6 +49,21 @@ def test_near_copies_equal_brute_force(spark, empty):
     assert near_copies.near_copies(empty).count() == 0
 
 
+def test_simhash_gives_candidates_of_its_own(spark, monkeypatch):
+    """Copies that no band finds are linked by their fingerprints, pairs that differ too much are not."""
+    monkeypatch.setattr(near_copies.MinHash, "bands", lambda self, s: [xxhash.xxh64_intdigest(s.tobytes()) >> 1])
+    r = random.Random(5)
+    words = [f"{a}{b}" for a in "abcdefgh" for b in range(200)]
+    base = [r.choice(words) for _ in range(2000)]
+    rows = [(k, " ".join([*base[:-1], f"end{k}"])) for k in range(4)] + [(9, " ".join(words[:90]))]
+    pairs = []
+    found = near_copies._simhash_pairs
+    monkeypatch.setattr(near_copies, "_simhash_pairs", lambda nodes: (pairs.append(found(nodes)), pairs[-1])[1])
+    got = near_copies.near_copies(spark.createDataFrame(rows, "doc_id bigint, text string"))
+    assert {x.doc_id: x.component_id for x in got.collect()} == {0: 0, 1: 0, 2: 0, 3: 0, 9: 9}
+    assert pairs[0].count() >= 3
+
+
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
 

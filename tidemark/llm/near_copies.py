@@ -1,11 +1,12 @@
 """Near copies by the Jaccard similarity of word-shingle sets.
 
 A text is the set of its five-word shingles (64-bit hashes). Texts with equal sets are one *node*.
-Nodes that share one of 32 bands of five MinHash values with another are candidates; among these, pairs
-that share a shingle of their prefixes (the rarest fifth) are verified on the whole sets, so a link is exact.
-Only the bands can miss: two texts of similarity s share none with probability (1 - s^5)^32, 3e-6 at 0.8,
-less above. (64-bit SimHash cannot do this: at similarity 0.8 about ten
-bits differ, beyond what segments with one open bit can index.)
+The SimHash operator (``llm.simhash``: deletion variants, at most two of 64 bits) gives the first candidates, from
+the fingerprints of these sets. At similarity 0.8 about ten bits differ, beyond what segments with one open bit can
+index, so nodes that share one of 32 bands of five MinHash values with another are candidates too; among these, pairs
+that share a shingle of their prefixes (the rarest fifth) are taken. All pairs are verified on the whole sets, so a
+link is exact. Missed is only what neither finds: two texts of similarity s share no band with probability
+(1 - s^5)^32, 3e-6 at 0.8, less above.
 
 A shingle shared by many nodes is not expanded into pairs: its nodes are compared first with the one that has the
 fewest rarer shingles. After that only pairs whose nodes are still in different components are compared, all of them,
@@ -20,9 +21,9 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import ASCII_LOWER, struct_array, text_udf, written
+from tidemark.llm.common import ASCII_LOWER, listed, struct_array, text_udf, written
 from tidemark.llm.components import connected_components
-from tidemark.llm.simhash import keep_one
+from tidemark.llm.simhash import fingerprint_links, keep_one, majority
 
 SHINGLE, SIMILARITY, BANDS, ROWS, SEED = 5, 0.8, 32, 5, 42
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -62,7 +63,8 @@ class MinHash:
 
 
 def _signatures(docs: DataFrame, id_col: str, text_col: str, shingle: int) -> DataFrame:
-    """(id, text_hash, node, bands): node is the digest of the shingle set; a wordless text has no bands."""
+    """(id, text_hash, node, bands, fp): node is the digest of the shingle set, fp its SimHash fingerprint; a wordless
+    text has no bands."""
 
     def make():
         minhash = MinHash()
@@ -74,15 +76,16 @@ def _signatures(docs: DataFrame, id_col: str, text_col: str, shingle: int) -> Da
                 {
                     "node": (nodes, pa.int64()),
                     "bands": ([minhash.bands(s) if len(s) else [] for s in sets], pa.list_(pa.int64())),
+                    "fp": (np.array([majority(s) if len(s) else 0 for s in sets], np.uint64).view(np.int64), pa.int64()),
                 }
             )
 
         return work
 
-    found = text_udf(make, "struct<node: bigint, bands: array<bigint>>")(F.col(text_col))
+    found = text_udf(make, "struct<node: bigint, bands: array<bigint>, fp: bigint>")(F.col(text_col))
     return docs.select(
         F.col(id_col).alias("id"), F.xxhash64(text_col).alias("text_hash"), found.alias("f")
-    ).select("id", "text_hash", "f.node", "f.bands")
+    ).select("id", "text_hash", "f.node", "f.bands", "f.fp")
 
 
 def _sets(docs: DataFrame, of: DataFrame, id_col: str, text_col: str, shingle: int) -> DataFrame:
@@ -94,14 +97,26 @@ def _sets(docs: DataFrame, of: DataFrame, id_col: str, text_col: str, shingle: i
     texts = docs.select(
         F.col(id_col).alias("__id"), F.xxhash64(text_col).alias("__hash"), F.col(text_col).alias("__text")
     )
-    own = texts.join(of, F.col("__id").eqNullSafe(F.col("id")) & (F.col("__hash") == F.col("text_hash")))
-    return own.select(
-        "node", text_udf(make, "array<bigint>")(F.col("__text")).alias("shingles")
-    ).dropDuplicates(["node"])
+    own = texts.join(listed(of), F.col("__id").eqNullSafe(F.col("id")) & (F.col("__hash") == F.col("text_hash")))
+    found = written(own.select("node", text_udf(make, "array<bigint>")(F.col("__text")).alias("shingles")), "copies-sets")
+    # Only rows that repeat in id and text give a node twice; sets are not shuffled for them unless there are any.
+    return found if found.count() == of.count() else written(found.dropDuplicates(["node"]), "copies-sets")
+
+
+def _simhash_pairs(nodes: DataFrame) -> DataFrame:
+    """(a, b) with a > b: the nodes that SimHash's deletion variants link, each by the least node of its fingerprint."""
+    least = written(nodes.groupBy("fp").agg(F.min("node").alias("least")), "copies-prints")
+    same = nodes.join(least.hint("merge"), "fp").where("node <> least").select(F.col("node").alias("x"), F.col("least").alias("y"))
+    links = fingerprint_links(least.select("fp")).join(least.toDF("a", "x").hint("merge"), "a")
+    links = links.join(least.toDF("b", "y").hint("merge"), "b").select("x", "y")
+    return same.unionByName(links).select(F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b"))
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
     """The pairs (a, b) whose sets reach the similarity."""
+    pairs = written(pairs.distinct(), "copies-pairs")
+    named = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
+    sets = sets.join(listed(written(named, "copies-named")), "node", "left_semi")
     both = pairs.join(sets.toDF("a", "x").hint("merge"), "a").join(sets.toDF("b", "y").hint("merge"), "b")
     common = F.size(F.array_intersect("x", "y"))
     return both.where(common * (1 + similarity) >= (F.size("x") + F.size("y")) * similarity - 1e-9).select("a", "b")
@@ -113,13 +128,16 @@ def _prefixes(sets: DataFrame, similarity: float) -> DataFrame:
     Ordered by rarity, two sets of the similarity meet within their first (1 - similarity) * size + 1 shingles.
     """
     each = sets.select("node", F.size("shingles").alias("size"), F.explode("shingles").alias("shingle"))
-    counts = each.groupBy("shingle").agg(F.count("*").alias("n"))
+    counts = each.groupBy("shingle").agg(F.count("*").alias("n")).where("n > 1")
+    # Shingles of one set alone come first and meet no other: only their number is needed.
     ordered = each.join(counts.hint("merge"), "shingle").groupBy("node", "size").agg(
         F.sort_array(F.collect_list(F.struct("n", "shingle"))).alias("x")
     )
-    prefix = F.slice("x", 1, (F.col("size") - F.ceil(F.col("size") * similarity - 1e-9) + 1).cast("int"))
-    rows = ordered.select("node", "size", F.posexplode(prefix).alias("at", "x"))
-    return rows.where("x.n > 1").select(F.col("x.shingle").alias("shingle"), "node", "size", "at")
+    prefix = F.col("size") - F.ceil(F.col("size") * similarity - 1e-9) + 1
+    alone = F.col("size") - F.size("x")
+    shared = F.slice("x", F.lit(1), F.greatest(prefix - alone, F.lit(0)).cast("int"))
+    rows = ordered.select("node", "size", alone.alias("alone"), F.posexplode(shared).alias("at", "x"))
+    return rows.select(F.col("x.shingle").alias("shingle"), "node", "size", (F.col("alone") + F.col("at")).alias("at"))
 
 
 def _pairs(rows: DataFrame, similarity: float) -> DataFrame:
@@ -140,16 +158,18 @@ def _linked(
     nodes = written(rows.where(F.size("bands") > 0).dropDuplicates(["node"]), "copies-nodes")
     bands = nodes.select(F.explode("bands").alias("band"), "node").repartition("band")
     shared = bands.groupBy("band").agg(F.count("*").alias("n")).where("n > 1").select("band")
-    near = bands.join(shared.hint("merge"), "band", "left_semi").select("node").distinct()
+    simhash_pairs = written(_simhash_pairs(nodes.select("node", "fp")), "copies-simhash")
+    ends = [simhash_pairs.select(F.col(c).alias("node")) for c in ("a", "b")]
+    near = bands.join(shared.hint("merge"), "band", "left_semi").select("node")
+    near = near.unionByName(ends[0]).unionByName(ends[1]).distinct()
     of = written(nodes.join(near.hint("merge"), "node", "left_semi").select("node", "id", "text_hash"), "copies-of")
-    sets = written(_sets(docs, of, id_col, text_col, shingle), "copies-sets")
+    sets = _sets(docs, of, id_col, text_col, shingle)
     members = written(_prefixes(sets, similarity), "copies-members")
     least = members.groupBy("shingle").agg(F.min(F.struct("at", "node", "size")).alias("y")).select(
         "shingle", F.col("y.node").alias("other"), F.col("y.size").alias("other_size"), F.col("y.at").alias("other_at")
     )
-    stars = written(
-        _verified(_pairs(members.join(least.hint("merge"), "shingle"), similarity), sets, similarity), "copies-stars"
-    )
+    compared = _pairs(members.join(least.hint("merge"), "shingle"), similarity).unionByName(simhash_pairs)
+    stars = written(_verified(compared, sets, similarity), "copies-stars")
     roots = written(connected_components(stars), "copies-roots")
     placed = members.join(roots.hint("merge"), "node", "left").withColumn("root", F.coalesce("root", "node"))
     parts = placed.groupBy("shingle", "root").agg(F.count("*").alias("n"))

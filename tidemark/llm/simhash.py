@@ -47,7 +47,12 @@ def simhash(text: str | None, shingle: int = SHINGLE) -> int:
     size = min(shingle, len(words))
     digest = xxhash.xxh64_intdigest
     hashes = [digest(joined[a:z], SEED) for a, z in zip(starts, ends[size - 1 :].tolist())]
-    bits = np.unpackbits(np.array(hashes, "<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+    return majority(np.array(hashes, np.uint64))
+
+
+def majority(hashes: np.ndarray) -> int:
+    """The fingerprint of unsigned 64-bit hashes: the bits that over half of them have."""
+    bits = np.unpackbits(hashes.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
     over = bits.sum(0, dtype=np.int64) * 2 > len(hashes)
     return int(np.packbits(over, bitorder="little").view("<u8")[0])
 
