@@ -112,23 +112,21 @@ def explode_sections(
 
 
 def long_to_wide_levels(levels: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Level rows to a wide row (A5): levels 1-15, adjustment (16) and total (17) in one aggregate over the known
-    levels.
-
-    The adjustment's magnitude is published unsigned and stored negative; its holder count is dropped (A6)."""
-    cols = []
-    for i in range(1, 16):
-        cols += [
-            F.max(F.when(F.col("level") == i, F.col(c))).alias(f"{c}_{i}") for c in ("holders", "shares", "percent")
-        ]
-    adj = [
-        (-F.abs(F.max(F.when(F.col("level") == 16, F.col(c))))).alias(f"adjustment_{c}") for c in ("shares", "percent")
-    ]
-    total = [
-        F.max(F.when(F.col("level") == 17, F.col(c))).alias(f"total_{c}") for c in ("holders", "shares", "percent")
-    ]
-    dropped = F.count_if((F.col("level") == 16) & F.col("holders").isNotNull()).alias("dropped_holder_counts")
-    return levels.groupBy(*keys).agg(*cols, *adj, *total, dropped)
+    """Level rows to a wide row (A5): levels 1-15, adjustment (16) and total (17) from the known levels.
+
+    A level's rows are combined first and then put to their places, so that no row passes fifty aggregates. The
+    adjustment's magnitude is published unsigned and stored negative; its holder count is dropped (A6)."""
+    values = ("holders", "shares", "percent")
+    wide = levels.withColumn("level", F.col("level").cast("int")).groupBy(*keys).pivot("level", list(range(1, 18))).agg(
+        *[F.max(c).alias(c) for c in values], F.count("holders").alias("n")
+    )
+    return wide.select(
+        *keys,
+        *[F.col(f"{i}_{c}").alias(f"{c}_{i}") for i in range(1, 16) for c in values],
+        *[(-F.abs(F.col(f"16_{c}"))).alias(f"adjustment_{c}") for c in ("shares", "percent")],
+        *[F.col(f"17_{c}").alias(f"total_{c}") for c in values],
+        F.coalesce("16_n", F.lit(0)).alias("dropped_holder_counts"),
+    )
 
 
 _MARK = "\x01"
