@@ -14,46 +14,57 @@ decimal places would be rounded to six in the moving averages.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.functions.rounding import half_up_values
 from tidemark.operators.metrics import METRICS, NEUTRAL_RSV, SERIES, WINDOWS, of_like_length, whole_series
 from tidemark.operators.sizes import clustered
 
 NAN = float("nan")
 ALL = slice(None)
-#: Places that all series of a chunk step again; of those before, only the series that have changed there do.
-NEAR = 4
 #: Versions of whole series that a task scans at once.
-ROWS_AT_ONCE = 100_000
-#: Parts of one that averages are summed in, as whole numbers.
-UNITS = {"close": 1_000_000, "volume": 1}
+ROWS_AT_ONCE = 200_000
+BARS = ("high", "low", "close", "volume")
+#: Parts of one that averages of close and volume are summed in, as whole numbers.
+UNITS = np.array([[1e6], [1.0]])
+LENGTHS = np.array(WINDOWS)
+#: Smoothing, adjustment and least number of values of the means that are stepped together: K, the fast and the slow
+#: mean, gains and losses of both RSI; then those of the first ones' results, D and the signal line.
+FIRST = [(1 / 3, False, 1), (2 / 13, False, 1), (2 / 27, False, 1)] + [(1 / p, True, p) for p in (6, 6, 12, 12)]
+SECOND = [(1 / 3, False, 1), (2 / 10, False, 1)]
 
 
-class RunningMean:
-    """Exponential means along series, with their states after every place (decay across gaps)."""
+class RunningMeans:
+    """Exponential means along series, with their states after every place (decay across gaps): a row a kind of mean."""
 
-    def __init__(self, n: int, width: int, alpha: float, adjust: bool, min_periods: int):
-        self.keep, self.alpha, self.adjust, self.least = 1 - alpha, alpha, adjust, min_periods
-        self.mean, self.weight = np.full((n + 1, width), NAN), np.ones((n + 1, width))
-        self.seen = np.zeros((n + 1, width), np.int32)
+    def __init__(self, n: int, width: int, kinds: Sequence[tuple[float, bool, int]]):
+        alpha, self.adjust, self.least = (np.array(k)[:, None] for k in zip(*kinds))
+        self.keep, self.new = 1 - alpha, np.where(self.adjust, 1.0, alpha)
+        self.mean, self.weight = np.full((n + 1, len(kinds), width), NAN), np.ones((n + 1, len(kinds), width))
+        self.seen = np.zeros((n + 1, len(kinds), width), np.int32)
 
     def step(self, i: int, value: np.ndarray, cols: slice | np.ndarray = ALL) -> np.ndarray:
         """Take the values of place ``i`` of the series ``cols`` in; the means after it, nan below the least number of values."""
-        mean, known = self.mean[i, cols], value == value
+        mean, known = self.mean[i][:, cols], value == value
         started = mean == mean
-        weight = np.where(started, self.weight[i, cols] * self.keep, 1.0)
-        new = 1.0 if self.adjust else self.alpha
-        moved = np.where(mean == value, mean, (weight * mean + new * value) / (weight + new))
-        self.mean[i + 1, cols] = np.where(known, np.where(started, moved, value), mean)
-        self.weight[i + 1, cols] = np.where(known & started, weight + new if self.adjust else 1.0, weight)
-        self.seen[i + 1, cols] = self.seen[i, cols] + known
-        return np.where(self.seen[i + 1, cols] >= self.least, self.mean[i + 1, cols], NAN)
+        weight = self.weight[i][:, cols] * self.keep
+        heavier = weight + self.new
+        after = np.where(mean == value, mean, (weight * mean + self.new * value) / heavier)
+        heavier = np.where(self.adjust, heavier, 1.0)
+        if not (known & started).all():
+            weight = np.where(started, weight, 1.0)
+            after = np.where(known, np.where(started, after, value), mean)
+            heavier = np.where(known & started, heavier, weight)
+        seen = self.seen[i][:, cols] + known
+        self.mean[i + 1][:, cols], self.seen[i + 1][:, cols], self.weight[i + 1][:, cols] = after, seen, heavier
+        return np.where(seen >= self.least, after, NAN)
 
 
 class Scan:
@@ -61,78 +72,85 @@ class Scan:
     column a series."""
 
     def __init__(self, n: int, width: int):
-        self.high, self.low, self.close, self.volume = (np.full((n, width), NAN) for _ in range(4))
-        mean = lambda alpha, adjust=False, least=1: RunningMean(n, width, alpha, adjust, least)
-        self.k, self.d, self.fast, self.slow, self.dea = (mean(a) for a in (1 / 3, 1 / 3, 2 / 13, 2 / 27, 2 / 10))
-        self.rsi = [(f"rsi{p}", mean(1 / p, True, p), mean(1 / p, True, p)) for p in (6, 12)]
-        #: Running sums, as whole numbers, and counts of the values that are there.
-        self.sums = {c: np.zeros((n + 1, width), np.int64) for c in UNITS}
-        self.counts = {c: np.zeros((n + 1, width), np.int32) for c in UNITS}
-        self.last: dict[str, np.ndarray] = {}
+        self.bars = np.full((len(BARS), n, width), NAN)
+        self.first, self.second = RunningMeans(n, width, FIRST), RunningMeans(n, width, SECOND)
+        #: Running sums of close and volume, as whole numbers, and counts of the values that are there.
+        self.sums, self.counts = np.zeros((n + 1, 2, width), np.int64), np.zeros((n + 1, 2, width), np.int32)
+        self.last: list[np.ndarray] = []
 
     def step(self, i: int, cols: slice | np.ndarray = ALL) -> None:
         """Bring the states of place ``i`` of the series ``cols`` up to date, those before it being so."""
-        close = self.close[i, cols]
-        for c, value in (("close", close), ("volume", self.volume[i, cols])):
-            known = value == value
-            self.sums[c][i + 1, cols] = self.sums[c][i, cols] + np.rint(np.where(known, value, 0.0) * UNITS[c]).astype(np.int64)
-            self.counts[c][i + 1, cols] = self.counts[c][i, cols] + known
+        value = self.bars[2:, i][:, cols]
+        known = value == value
+        self.sums[i + 1][:, cols] = self.sums[i][:, cols] + np.rint(np.where(known, value, 0.0) * UNITS).astype(np.int64)
+        self.counts[i + 1][:, cols] = self.counts[i][:, cols] + known
+        close = value[0]
         rsv = np.full(len(close), NEUTRAL_RSV)
         if i >= 8:
-            high, low = self.high[i - 8 : i + 1, cols].max(0), self.low[i - 8 : i + 1, cols].min(0)
+            high, low = self.bars[0, i - 8 : i + 1][:, cols].max(0), self.bars[1, i - 8 : i + 1][:, cols].min(0)
             rsv = np.where((close == close) & (high > low), (close - low) / (high - low) * 100, NEUTRAL_RSV)
-        k = self.k.step(i, rsv, cols)
-        dif = self.fast.step(i, close, cols) - self.slow.step(i, close, cols)
-        dea = self.dea.step(i, dif, cols)
-        self.last = {"k": k, "d": self.d.step(i, k, cols), "macd_dif": dif, "macd_dea": dea, "macd_hist": dif - dea}
-        change = close - self.close[i - 1, cols] if i else np.full(len(close), NAN)
-        for name, up, down in self.rsi:
-            gain, loss = up.step(i, np.maximum(change, 0.0), cols), down.step(i, np.maximum(-change, 0.0), cols)
-            value = np.where(loss == 0, np.where(gain > 0, 100.0, NAN), 100 - 100 / (1 + gain / loss))
-            self.last[name] = value
-
-    def mean_of_last(self, c: str, i: int, n: int) -> np.ndarray:
-        if i + 1 < n:
-            return np.full(self.close.shape[1], NAN)
-        whole = self.counts[c][i + 1] - self.counts[c][i + 1 - n] == n
-        return np.where(whole, (self.sums[c][i + 1] - self.sums[c][i + 1 - n]) / UNITS[c] / n, NAN)
-
-    def row(self, i: int) -> np.ndarray:
-        """The panels of place ``i``, whose states are the last computed: a row a series."""
-        out = dict(self.last)
-        for n in WINDOWS:
-            out[f"ma{n}"], out[f"vma{n}"] = self.mean_of_last("close", i, n), self.mean_of_last("volume", i, n)
-        middle = out["bb_middle"] = out["ma20"]
-        width = 2 * np.std(self.close[i - 19 : i + 1], axis=0, ddof=1) if i >= 19 else np.full(len(middle), NAN)
-        out["bb_upper"], out["bb_lower"] = middle + width, middle - width
-        return np.column_stack([out[m] for m in METRICS])
+        change = close - self.bars[2, i - 1][cols] if i else np.full(len(close), NAN)
+        rise, fall = np.maximum(change, 0.0), np.maximum(-change, 0.0)
+        means = self.first.step(i, np.stack([rsv, close, close, rise, fall, rise, fall]), cols)
+        dif = means[1] - means[2]
+        d, dea = self.second.step(i, np.stack([means[0], dif]), cols)
+        gain, loss = means[3::2], means[4::2]
+        rsi = np.where(loss == 0, np.where(gain > 0, 100.0, NAN), 100 - 100 / (1 + gain / loss))
+        self.last = [means[0], d, *rsi, dif, dea, dif - dea]
+
+    def row(self, i: int, out: np.ndarray) -> None:
+        """Put the panels of place ``i``, whose states are the last computed, into ``out``: a row a metric."""
+        before = np.maximum(i + 1 - LENGTHS, 0)
+        whole = self.counts[i + 1] - self.counts[before] == LENGTHS[:, None, None]
+        average = (self.sums[i + 1] - self.sums[before]) / UNITS / LENGTHS[:, None, None]
+        n = len(LENGTHS)
+        out[:n], out[n : 2 * n] = np.where(whole, average, NAN).swapaxes(0, 1)
+        middle = out[WINDOWS.index(20)]
+        width = 2 * np.std(self.bars[2, i - 19 : i + 1], axis=0, ddof=1) if i >= 19 else np.full(len(middle), NAN)
+        for k, value in enumerate([*self.last, middle + width, middle, middle - width], 2 * n):
+            out[k] = value
 
 
 def read_digests(
-    places: int, moves: Sequence[tuple[int, int, int, int]], items: Sequence[bytes]
+    places: int, turns: Sequence[int], place: Sequence[int], items: Sequence[bytes]
 ) -> tuple[list[int], list[str]]:
-    """The number and the digest of what each of a series' dates has read. ``moves`` are the versions written, in order:
-    the date at which each is seen, its own date's place, its instant and its number in ``items``."""
+    """The number and the digest of what each of a series' dates has read. Versions are written in order of ``turns``, the
+    dates at which each is seen; ``place`` is each one's own date."""
     digests, inputs = [hashlib.sha256()] * (places + 1), [0] * (places + 1)
     held: list[bytes] = [b""] * places
-    counts, prints, at = [], [], 0
+    counts, prints, at, n = [], [], 0, len(turns)
     for i in range(places):
         start = i
-        while at < len(moves) and moves[at][0] == i:
-            _, place, _, v = moves[at]
-            held[place], start, at = items[v], min(start, place), at + 1
+        while at < n and turns[at] == i:
+            p = place[at]
+            held[p] = items[at]
+            if p < start:
+                start = p
+            at += 1
         for j in range(start, i + 1):
-            digest, count = digests[j], inputs[j]
-            if held[j]:
+            digest, count, item = digests[j], inputs[j], held[j]
+            if item:
                 digest = digest.copy()
-                digest.update(b"," + held[j] if count else held[j])
+                digest.update(b"," + item if count else item)
                 count += 1
             digests[j + 1], inputs[j + 1] = digest, count
-        counts.append(inputs[i + 1])
-        prints.append(digests[i + 1].hexdigest())
+        counts.append(count)
+        prints.append(digest.hexdigest())
     return counts, prints
 
 
+def written(cell: np.ndarray, turns: np.ndarray, available: np.ndarray, recorded: np.ndarray) -> np.ndarray:
+    """The versions that are ever seen, by their cell (a series' date) and turn: of those that a cell gets at one turn the
+    last, and none that was recorded before one which became available earlier."""
+    order = np.lexsort((recorded, available, cell))
+    age = np.unique(recorded[order], return_inverse=True)[1]
+    begins = np.r_[True, cell[order][1:] != cell[order][:-1]][: len(order)]
+    age = age + np.cumsum(begins) * len(order)
+    order = order[age == np.maximum.accumulate(age)]
+    c, t = cell[order], turns[order]
+    return order[np.r_[(c[1:] != c[:-1]) | (t[1:] != t[:-1]), True][: len(order)]]
+
+
 def scan_series(
     dates: Sequence[np.ndarray],
     cutoffs: Sequence[np.ndarray],
@@ -145,45 +163,63 @@ def scan_series(
     """The panel rows of each series, with the number and the digest of what each has read: their ``dates`` with their
     ``cutoffs``, and versions with their date's place, instants, values and item of the digest.
 
-    All series step together. Stepping one from a place before its first changed one gives the same states again, so of
-    the last places all series step; a correction of an earlier one is followed in its own series up to these."""
-    width, longest = len(dates), max(map(len, dates))
-    scan = Scan(longest, width)
-    arrivals: list[list[tuple[int, int, np.ndarray]]] = [[] for _ in range(longest)]
+    All series step together at each place; a correction of an earlier one is followed up to it in its own series."""
+    sizes = np.array([len(d) for d in dates])
+    width, longest = len(sizes), sizes.max()
+    own = np.repeat(np.arange(width), [len(p) for p in place])
+    seen = np.concatenate([np.searchsorted(c, a, "left") for c, a in zip(cutoffs, available)])
+    place = np.concatenate(place)
+    turns, shown = np.maximum(seen, place), np.flatnonzero(seen < sizes[own])
+    instants = (np.concatenate(x)[shown] for x in (available, recorded))
+    found = shown[written((own * longest + place)[shown], turns[shown], *instants)]
+    found = found[np.lexsort((turns[found], own[found]))]
+    names = [x for part in items for x in part]
+    ends = np.searchsorted(own[found], np.arange(width + 1))
     marks = []
     for s in range(width):
-        order = np.lexsort((recorded[s], available[s]))
-        seen = np.searchsorted(cutoffs[s], available[s][order], "left")
-        newest, moves = [-(1 << 63)] * len(dates[s]), []
-        where, when = place[s][order].tolist(), recorded[s][order].tolist()
-        for v, i, p, r in zip(order.tolist(), seen.tolist(), where, when):
-            if i < len(dates[s]) and r >= newest[p]:
-                newest[p] = r
-                moves.append((max(i, p), p, r, v))
-        moves.sort(key=lambda m: m[0])
-        for i, p, _, v in moves:
-            arrivals[i].append((p, s, values[s][v]))
-        marks.append(read_digests(len(dates[s]), moves, items[s]))
-    found = np.empty((longest, width, len(METRICS)))
+        own_moves = found[ends[s] : ends[s + 1]]
+        at = [names[v] for v in own_moves.tolist()]
+        marks.append(read_digests(len(dates[s]), turns[own_moves].tolist(), place[own_moves].tolist(), at))
+    found = found[np.argsort(turns[found], kind="stable")]
+    ends = np.searchsorted(turns[found], np.arange(longest + 1))
+    place, own, values = place[found], own[found], np.concatenate(values)[found].T
+    scan, panels = Scan(longest, width), np.empty((longest, len(METRICS), width))
     with np.errstate(invalid="ignore", divide="ignore"):
         for i in range(longest):
-            for p, s, (high, low, close, volume) in arrivals[i]:
-                scan.high[p, s], scan.low[p, s], scan.close[p, s], scan.volume[p, s] = high, low, close, volume
-            near = max(0, i - NEAR) if any(p < i for p, _, _ in arrivals[i]) else i
-            far = sorted((p, s) for p, s, _ in arrivals[i] if p < near)
-            for j in range(far[0][0] if far else near, near):
-                scan.step(j, np.unique([s for p, s in far if p <= j]))
-            for j in range(near, i + 1):
-                scan.step(j)
-            found[i] = scan.row(i)
-    return [(found[: len(dates[s]), s], *marks[s]) for s in range(width)]
+            here = slice(ends[i], ends[i + 1])
+            p, s = place[here], own[here]
+            scan.bars[:, p, s] = values[:, here]
+            late = p < i
+            if late.any():
+                since = np.full(width, i)
+                np.minimum.at(since, s[late], p[late])
+                for j in range(since.min(), i):
+                    scan.step(j, np.flatnonzero(since <= j))
+            scan.step(i)
+            scan.row(i, panels[i])
+    return [(panels[: len(dates[s]), :, s], *marks[s]) for s in range(width)]
+
+
+def day_texts(days: np.ndarray) -> np.ndarray:
+    """``yyyy-MM-dd`` of days since 1970, a row of ten bytes each."""
+    kinds, which = np.unique(days, return_inverse=True)
+    return np.datetime_as_string(kinds.astype("datetime64[D]")).astype("S10").view(np.uint8).reshape(-1, 10)[which]
 
 
 def input_items(days: np.ndarray, recorded: np.ndarray) -> list[bytes]:
-    """``date@recorded`` of versions, instants in UTC to the microsecond, without a fraction where there is none."""
-    dates = np.datetime_as_string(days.astype("datetime64[D]"))
-    instants = np.datetime_as_string(recorded.astype("datetime64[us]"))
-    return [f"{d}@{r.removesuffix('.000000')}+00:00".encode() for d, r in zip(dates.tolist(), instants.tolist())]
+    """``date@recorded`` of versions (days since 1970, microseconds), instants in UTC to the microsecond, without a fraction
+    where there is none."""
+    day, rest = np.divmod(recorded, 86_400_000_000)
+    seconds, micros = np.divmod(rest, 1_000_000)
+    text = np.empty((len(days), 36), np.uint8)
+    text[:] = np.frombuffer(b"0000-00-00@0000-00-00T00:00:00+00:00", np.uint8)
+    text[:, :10], text[:, 11:21] = day_texts(days), day_texts(day)
+    for at, unit, most in ((22, 36_000, 10), (23, 3_600, 10), (25, 600, 6), (26, 60, 10), (28, 10, 6), (29, 1, 10)):
+        text[:, at] += (seconds // unit % most).astype(np.uint8)
+    items = text.view("S36").ravel().tolist()
+    for v in np.flatnonzero(micros).tolist():
+        items[v] = items[v][:30] + b".%06d" % micros[v] + items[v][30:]
+    return items
 
 
 def rolling_panel(
@@ -191,54 +227,86 @@ def rolling_panel(
     rule: Callable[[Column], Column],
     series: Sequence[str] = SERIES,
     date: str = "trade_date",
+    places: Mapping[str, int] | None = None,
+    dealt: bool = False,
 ) -> DataFrame:
     """The 22 metrics of every date from the versions public at its own release instant ``rule(date)``, with ``input_count``
     and ``input_fingerprint`` of the versions it read (E18: SHA-256 over their ``date@recorded``, comma-joined).
 
     ``available`` has the series, the date, recorded_at, available_at, high, low, close and volume. A task scans
-    some hundred series at once; only what it needs is shuffled.
+    some hundred series at once; only what it needs is shuffled, and nothing if ``dealt``: every series lies in one partition.
+    With ``places`` metrics are rounded half up where they are computed, as Spark's ``round`` does.
     """
-    micros = lambda c: F.unix_micros(F.col(c).cast("timestamp_ntz").cast("timestamp")) if isinstance(c, str) else c
-    bars = [F.col(c).cast("double").alias(c) for c in ("high", "low", "close", "volume")]
+    micros = lambda c: F.unix_micros(F.col(c).cast("timestamp_ntz").cast("timestamp"))
     own = F.unix_micros(rule(F.col(date)).cast("timestamp")).alias("__cutoff")
-    rows = available.select(
-        *series, date, micros("recorded_at").alias("__r"), micros("available_at").alias("__a"), own, *bars
+    rows = available if dealt else clustered(available, series)
+    rows = rows.sortWithinPartitions(*series, date).select(
+        *series,
+        F.unix_date(date).alias("__d"),
+        micros("recorded_at").alias("__r"),
+        micros("available_at").alias("__a"),
+        own,
+        *[F.col(c).cast("double").alias(c) for c in BARS],
     )
     schema = T.StructType(
-        [rows.schema[c] for c in (*series, date)]
+        [available.schema[c] for c in (*series, date)]
         + [T.StructField(m, T.DoubleType()) for m in METRICS]
         + [T.StructField("input_count", T.LongType()), T.StructField("input_fingerprint", T.StringType())]
     )
+    digits = np.array([places[m] for m in METRICS]) if places else None
 
-    def side_by_side(chunk: pd.DataFrame, begins: np.ndarray, ends: np.ndarray) -> pd.DataFrame:
+    def side_by_side(chunk: pd.DataFrame, begins: np.ndarray, ends: np.ndarray, kinds: pa.Schema) -> pa.RecordBatch:
         """Some series of a chunk, which lie from ``begins`` to ``ends``."""
-        dates, given = [], []
-        for a, z in zip(begins, ends):
-            days, first, place = np.unique(chunk[date].to_numpy()[a:z], return_index=True, return_inverse=True)
-            recorded = chunk["__r"].to_numpy()[a:z]
-            dates.append(days)
-            given.append((
-                days,
-                chunk["__cutoff"].to_numpy()[a:z][first],
-                place,
-                chunk["__a"].to_numpy()[a:z],
-                recorded,
-                chunk[["high", "low", "close", "volume"]].to_numpy(float)[a:z],
-                input_items(chunk[date].to_numpy()[a:z], recorded),
-            ))
-        scanned = scan_series(*zip(*given))
-        out = pd.DataFrame(np.concatenate([x[0] for x in scanned]), columns=list(METRICS))
-        out = out.assign(input_count=sum((x[1] for x in scanned), []), input_fingerprint=sum((x[2] for x in scanned), []))
-        out.insert(0, date, np.concatenate(dates))
-        sizes = [len(d) for d in dates]
-        for k, c in enumerate(series):
-            out.insert(k, c, np.repeat(chunk[c].to_numpy()[begins], sizes))
-        return out
-
-    def along(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for chunk, begins in whole_series(frames, series, ROWS_AT_ONCE):
+        lengths = ends - begins
+        starts = np.cumsum(lengths) - lengths
+        rows = np.arange(lengths.sum()) + np.repeat(begins - starts, lengths)
+        days, recorded, instants, cutoffs = (
+            chunk[c].astype("int64").to_numpy()[rows] for c in ("__d", "__r", "__a", "__cutoff")
+        )
+        new = np.r_[True, days[1:] != days[:-1]]
+        new[starts] = True
+        number, heads = np.cumsum(new) - 1, np.flatnonzero(new)
+        edges, firsts = starts[1:], number[starts]
+        by_series = lambda x: np.split(x, edges)
+        by_date = lambda x: np.split(x[heads], firsts[1:])
+        names, z = input_items(days, recorded), np.append(edges, len(rows))
+        scanned = scan_series(
+            by_date(days),
+            by_date(cutoffs),
+            by_series(number - np.repeat(firsts, lengths)),
+            by_series(instants),
+            by_series(recorded),
+            by_series(chunk[list(BARS)].to_numpy(float)[rows]),
+            [names[a:b] for a, b in zip(starts, z)],
+        )
+        panels = np.concatenate([x[0] for x in scanned])
+        if digits is not None:
+            panels = half_up_values(panels, digits)
+        sizes = np.diff(np.append(firsts, len(heads)))
+        which = pa.array(np.repeat(np.arange(len(begins)), sizes))
+        keys = [pa.array(chunk[c].to_numpy()[begins], kinds.field(c).type).take(which) for c in series]
+        return pa.RecordBatch.from_arrays(
+            [
+                *keys,
+                pa.array(days[heads].astype(np.int32)).cast(pa.date32()),
+                *[pa.array(x, from_pandas=True) for x in np.ascontiguousarray(panels.T)],
+                pa.array([n for x in scanned for n in x[1]], pa.int64()),
+                pa.array([t for x in scanned for t in x[2]], pa.string()),
+            ],
+            names=schema.names,
+        )
+
+    def along(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kinds: list[pa.Schema] = []
+
+        def frames() -> Iterator[pd.DataFrame]:
+            for batch in batches:
+                kinds[:] = [batch.schema]
+                yield batch.to_pandas()
+
+        for chunk, begins in whole_series(frames(), series, ROWS_AT_ONCE):
             ends = np.append(begins[1:], len(chunk))
             for part in of_like_length(ends - begins):
-                yield side_by_side(chunk, begins[part], ends[part])
+                yield side_by_side(chunk, begins[part], ends[part], kinds[0])
 
-    return clustered(rows, series).sortWithinPartitions(*series, date).mapInPandas(along, schema)
+    return rows.mapInArrow(along, schema)

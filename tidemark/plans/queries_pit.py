@@ -11,7 +11,7 @@ from tidemark.functions import instants
 from tidemark.datasets import Dataset, dataset
 from tidemark.operators import append, derived, metrics, pit, reads, rolling
 from tidemark.plans.panels import actions, facts, reports, table, versions, with_
-from tidemark.plans.queries_metrics import panel_columns
+from tidemark.plans.queries_metrics import PLACES
 from tidemark.plans.registry import query
 from tidemark.sources import tables
 
@@ -280,8 +280,7 @@ _ROLLING = f"""{with_('available')}, cut as (select distinct stock_id, source, t
 def _(spark, d):
     """All 22 metrics of every date as the market saw them at its own release instant."""
     rows = available(spark, d).withColumn("high", F.col("close") + 1).withColumn("low", F.col("close") - 1)
-    found = rolling.rolling_panel(rows, DAILY)
-    return found.select(*KEY, *panel_columns(), "input_count", "input_fingerprint")
+    return rolling.rolling_panel(rows, DAILY, places=PLACES, dealt=True)
 
 
 @query(
